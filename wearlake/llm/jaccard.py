@@ -81,7 +81,7 @@ def _binary(arrays: list[np.ndarray]) -> pa.Array:
     return pa.array([x.tobytes() for x in arrays], pa.binary())
 
 
-def _postings(docs: DataFrame, n: int, buckets: int, hot: int, text_col: str, flush_at: int = 4_000_000) -> DataFrame:
+def _postings(docs: DataFrame, n: int, buckets: int, hot: int, text_col: str, flush_at: int = 1_500_000) -> DataFrame:
     """(bucket, hot, nodes, sizes, counts, low, high) rows: runs of a node's shingles in a bucket.
 
     The bucket is the top bits of a shingle, low and high its last 48.  Rows
@@ -266,8 +266,12 @@ def _candidates(tokens: DataFrame, percent: int) -> DataFrame:
     return shared.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("a_l", "b_l")).alias("l")).filter("n >= l")
 
 
-def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: int = 2, rounds: int = 4) -> DataFrame:
-    """Links (a, b) that give the components of the full join over the nodes of ``sets``."""
+def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: int = 2, rounds: int = 4, pairs_per_posting: float = 4) -> DataFrame:
+    """Links (a, b) that give the components of the full join over the nodes of ``sets``.
+
+    Star rounds go on, ``rounds`` at most, while the pairs left in posting lists
+    would be more than ``pairs_per_posting`` times the postings.
+    """
     tokens = sets.select("node", "size", "l", F.explode("prefix").alias("token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     tokens = materialise(tokens.join(lists, "token").withColumn("comp", F.col("node")), "tokens")
@@ -277,7 +281,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: i
         todo = state.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
         if not todo[0]:
             break
-        if turn == rounds or todo[1] <= 4 * todo[0]:
+        if turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
             pairs = _candidates(tokens.join(state.select("token"), "token"), percent)
             last = True
         else:
@@ -286,7 +290,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: i
             votes = tokens.join(lead, "token").withColumn("to", F.when(F.col("comp") != F.col("x.comp"), F.struct("x.node", "x.size")).otherwise(F.struct(F.negate("y.node").alias("node"), F.col("y.size").alias("size"))))
             votes = votes.filter(F.least("size", "to.size") * 100 >= F.greatest("size", "to.size") * percent).groupBy("node", F.col("to.node").alias("leader")).agg(F.count("*").alias("n"))
             best = votes.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", F.negate("leader").alias("leader"))), asc=False), 1, leaders).alias("best"))
-            pairs = best.select("node", F.negate(F.explode("best.leader")).alias("leader")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+            pairs = best.select("node", F.explode("best.leader").alias("minus")).withColumn("leader", F.negate("minus")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
             last = False
         new = materialise(_verified(pairs, sets, percent), "links")
         found = new if found is None else found.union(new)
@@ -301,7 +305,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: i
     return found if found is not None else spark.createDataFrame([], "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 
     Words are lower-cased (A-Z); a set holds the distinct n-word shingles, with
@@ -317,7 +321,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int
     while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
         buckets *= 2
     sets = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, text_col), buckets), percent), "sets")
-    links = jaccard_links(spark, sets, percent)
+    links = jaccard_links(spark, sets, percent, pairs_per_posting=pairs_per_posting)
     parts = materialise(connected_components(links), "components")
     nodes = materialise(document_nodes(docs, n, id_col, text_col), "nodes")
     classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
