@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import connected_components, discard, materialise
+from wearlake.llm.runtime import connected_components, materialise, release
 
 _LOW = np.uint64((1 << 48) - 1)
 #: Rank of a shingle that some map task found frequent.
@@ -239,23 +239,23 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose sets have 100 * |a & b| >= percent * |a | b|."""
+    """The rows (a, b, a_comp, b_comp) of ``pairs`` whose sets have 100 * |a & b| >= percent * |a | b|."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("shingles").alias(f"{c}_set"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_size", "b_size", "a_set", "b_set")
+    both = pairs.select("a", "b", "a_comp", "b_comp").join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_comp", "b_comp", "a_size", "b_size", "a_set", "b_set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a_size, b_size = (batch.column(k).to_numpy() for k in (2, 3))
+            a_size, b_size = (batch.column(k).to_numpy() for k in (4, 5))
             keep = np.zeros(len(a_size), bool)
-            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+            for i, (x, y) in enumerate(zip(batch.column(6), batch.column(7))):
                 joint = np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
                 joint.sort()
                 same = int(np.count_nonzero(joint[1:] == joint[:-1]))
                 keep[i] = 100 * same >= percent * (int(a_size[i]) + int(b_size[i]) - same)
             mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in range(4)], ["a", "b", "a_comp", "b_comp"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long, a_comp long, b_comp long")
 
 
 def _candidates(tokens: DataFrame, percent: int) -> DataFrame:
@@ -263,46 +263,51 @@ def _candidates(tokens: DataFrame, percent: int) -> DataFrame:
     left, right = (tokens.select("token", *(F.col(c).alias(f"{k}_{c}") for c in ("node", "size", "l", "comp"))) for k in "ab")
     fits = (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent) & (F.col("a_comp") != F.col("b_comp"))
     shared = left.join(right, "token").filter((F.col("a_node") < F.col("b_node")) & fits)
-    return shared.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("a_l", "b_l")).alias("l")).filter("n >= l")
+    shared = shared.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_comp", "b_comp")
+    return shared.agg(F.count("*").alias("n"), F.min(F.least("a_l", "b_l")).alias("l")).filter("n >= l")
 
 
-def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, leaders: int = 2, rounds: int = 4, pairs_per_posting: float = 4) -> DataFrame:
+def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4) -> DataFrame:
     """Links (a, b) that give the components of the full join over the nodes of ``sets``.
 
     Star rounds go on, ``rounds`` at most, while the pairs left in posting lists
-    would be more than ``pairs_per_posting`` times the postings.
+    would be more than ``pairs_per_posting`` times the postings.  In a round
+    every node is verified against the leader that most of its lists have; a
+    list's leaders are the smallest nodes of its first and of its last
+    component.  A link relabels the later component as the earlier one; lists
+    inside one component are settled and go.
     """
-    tokens = sets.select("node", "size", "l", F.explode("prefix").alias("token"))
-    lists = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    tokens = materialise(tokens.join(lists, "token").withColumn("comp", F.col("node")), "tokens")
-    found = None
+    tokens = sets.select("node", "size", "l", F.col("node").alias("comp"), F.explode("prefix").alias("token"))
+    found = []
     for turn in range(rounds + 1):
-        state = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most")
-        todo = state.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        lists = tokens.groupBy("token").agg(
+            F.count("*").alias("n"), F.min(F.struct("comp", "node", "size")).alias("x"), F.max(F.struct("comp", F.negate("node").alias("node"), "size")).alias("y")
+        )
+        lists = materialise(lists.filter("x.comp < y.comp"), "lists")
+        todo = lists.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
         if not todo[0]:
             break
         if turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
-            pairs = _candidates(tokens.join(state.select("token"), "token"), percent)
-            last = True
-        else:
-            # leaders: the smallest node of a list's smallest and of its largest component
-            lead = tokens.groupBy("token").agg(F.min(F.struct("comp", "node", "size")).alias("x"), F.max(F.struct("comp", F.negate("node").alias("node"), "size")).alias("y")).filter("x.comp < y.comp")
-            votes = tokens.join(lead, "token").withColumn("to", F.when(F.col("comp") != F.col("x.comp"), F.struct("x.node", "x.size")).otherwise(F.struct(F.negate("y.node").alias("node"), F.col("y.size").alias("size"))))
-            votes = votes.filter(F.least("size", "to.size") * 100 >= F.greatest("size", "to.size") * percent).groupBy("node", F.col("to.node").alias("leader")).agg(F.count("*").alias("n"))
-            best = votes.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", F.negate("leader").alias("leader"))), asc=False), 1, leaders).alias("best"))
-            pairs = best.select("node", F.explode("best.leader").alias("minus")).withColumn("leader", F.negate("minus")).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-            last = False
-        new = materialise(_verified(pairs, sets, percent), "links")
-        found = new if found is None else found.union(new)
-        if last:
+            found.append(materialise(_verified(_candidates(tokens.join(lists.select("token"), "token"), percent), sets, percent), "links"))
             break
-        parts = materialise(connected_components(found), "components")
-        renamed = tokens.drop("comp").join(parts, "node", "left")
-        renewed = materialise(renamed.select("node", "size", "l", "token", F.coalesce("component", "node").alias("comp")), "tokens")
-        discard(tokens)
-        discard(parts)
-        tokens = renewed
-    return found if found is not None else spark.createDataFrame([], "a long, b long")
+        kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
+        last = F.struct(F.col("y.comp").alias("comp"), F.negate("y.node").alias("node"), F.col("y.size").alias("size"))
+        votes = kept.select("node", "size", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(last).alias("to"))
+        votes = votes.filter(F.least("size", "to.size") * 100 >= F.greatest("size", "to.size") * percent)
+        votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(F.max(F.struct("n", "to")).alias("best"))
+        node, to = F.col("node"), F.col("best.to.node")
+        pairs = votes.select(
+            F.least(node, to).alias("a"), F.greatest(node, to).alias("b"),
+            F.when(node < to, F.col("comp")).otherwise(F.col("best.to.comp")).alias("a_comp"), F.when(node < to, F.col("best.to.comp")).otherwise(F.col("comp")).alias("b_comp"),
+        ).distinct()
+        found.append(materialise(_verified(pairs, sets, percent), "links"))
+        later = found[-1].groupBy(F.greatest("a_comp", "b_comp").alias("comp")).agg(F.min(F.least("a_comp", "b_comp")).alias("to_comp"))
+        tokens = kept.join(later, "comp", "left").select("node", "size", "l", F.coalesce("to_comp", "comp").alias("comp"), "token")
+        release(spark)
+    out = spark.createDataFrame([], "a long, b long")
+    for links in found:
+        out = out.union(links.select("a", "b"))
+    return out
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -321,6 +326,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int
     while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
         buckets *= 2
     sets = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, text_col), buckets), percent), "sets")
+    release(spark)
     links = jaccard_links(spark, sets, percent, pairs_per_posting=pairs_per_posting)
     parts = materialise(connected_components(links), "components")
     nodes = materialise(document_nodes(docs, n, id_col, text_col), "nodes")

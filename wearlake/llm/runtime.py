@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,39 +45,43 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that are written and no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node of an undirected edge list; a component is named by its smallest node.
 
-    Large-star and small-star rounds in turn.  Each round is a partial
-    aggregation and an equi-join, so a node with very many neighbours is
-    pre-aggregated and its join partition can be split.  Rounds are written to
-    the shared folder.  Self-loops keep their node; nulls are ignored; an empty
-    edge list gives an empty result.
+    Large-star and small-star rounds in turn, until every edge leads from a node
+    to the one root it has.  Each round is a partial aggregation and an
+    equi-join, so a node with very many neighbours is pre-aggregated and its
+    join partition can be split.  Rounds are written to the shared folder.
+    Self-loops keep their node; nulls are ignored; an empty edge list gives an
+    empty result.
     """
     seen = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a is not null and b is not null")
     nodes = materialise(seen.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    links = nodes.filter("u <> v")
-    written = nodes
-
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    before = mark(links)
-    while before[0]:
-        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    links = written = nodes
+    loops = True
+    while True:
+        ends = links.filter("u <> v") if loops else links
+        end = lambda node, up: F.struct(F.col(node).alias("node"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+        role = ends.select(F.explode(F.array(end("u", 1), end("v", 0))).alias("r"))
+        role = role.groupBy("r.node").agg(F.sum("r.up").alias("up"), F.max("r.down").alias("down"))
+        if role.filter("up + down > 1 and up > 0").isEmpty():
+            break
+        edge = lambda u, v: F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
+        both = ends.select(F.explode(F.array(edge("u", "v"), edge("v", "u"))).alias("e")).select("e.u", "e.v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        turned = large.join(low, "u").filter("v <> m").select("u", F.col("m").alias("v"))
-        now = materialise(small.union(turned).filter("u <> v").distinct(), "star")
-        after = mark(now)
+        small = large.join(low, "u").select(F.explode(F.array(edge("u", "m"), edge("v", "m"))).alias("e"))
+        now = materialise(small.select("e.u", "e.v").filter("u <> v").distinct(), "star")
         if written is not nodes:
             discard(written)
-        links = written = now
-        if after == before:
-            break
-        before = after
-    ends = nodes.select(F.col("u").alias("node")).union(nodes.select("v")).distinct()
-    labels = links.groupBy("u").agg(F.min("v").alias("m"))
+        links, written, loops = now, now, False
+    ends = nodes.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    labels = (links.filter("u <> v") if loops else links).groupBy("u").agg(F.min("v").alias("m"))
     return ends.join(labels, ends.node == labels.u, "left").select("node", F.coalesce("m", "node").alias("component"))
