@@ -23,7 +23,7 @@ from wearlake.llm import textvec as tv
 _U = np.uint64
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Pieces kept in a cache before it is emptied.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 400_000
 
 
 @lru_cache(1)

@@ -166,6 +166,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, id_col: str = "doc_id", tex
                     ],
                     [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )
+        tv.trim()
 
     kinds = f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return in_order(docs, id_col=id_col, text_col=text_col).mapInArrow(run, kinds)

@@ -73,6 +73,7 @@ def document_nodes(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col
                 sizes.append(np.diff(begin))
             size = np.concatenate(sizes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(nodes), mask=size == 0), pa.array(size)], ["id", "node", "n_shingles"])
+        tv.trim()
 
     return docs.select(id_col, text_col).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, node long, n_shingles long")
 
@@ -142,6 +143,7 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, text_col: str, fl
                     held, waiting, salt = [], 0, salt + 1
         if waiting:
             yield from flush(held, salt)
+        tv.trim()
 
     return docs.select(text_col).mapInArrow(run, "bucket long, hot int, nodes binary, sizes binary, counts binary, low binary, high binary")
 
@@ -258,13 +260,51 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, a_comp long, b_comp long")
 
 
-def _candidates(tokens: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix shingles and have sizes that allow a link."""
-    left, right = (tokens.select("token", *(F.col(c).alias(f"{k}_{c}") for c in ("node", "size", "l", "comp"))) for k in "ab")
-    fits = (F.least("a_size", "b_size") * 100 >= F.greatest("a_size", "b_size") * percent) & (F.col("a_comp") != F.col("b_comp"))
-    shared = left.join(right, "token").filter((F.col("a_node") < F.col("b_node")) & fits)
-    shared = shared.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_comp", "b_comp")
-    return shared.agg(F.count("*").alias("n"), F.min(F.least("a_l", "b_l")).alias("l")).filter("n >= l")
+def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int = 100_000) -> DataFrame:
+    """All pairs of different components that share enough prefix shingles and have sizes that allow a link.
+
+    Lists with the same leader mostly hold the same nodes, so they are counted
+    together, in groups of about ``group`` postings: a pair is emitted once per
+    group, not once per shared shingle.
+    """
+    totals = lists.groupBy(F.col("x.node").alias("leader")).agg(F.ceil(F.sum("n") / group).alias("parts"))
+    dealt = lists.select("token", F.col("x.node").alias("leader")).join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
+
+    def run(table: pa.Table) -> pa.Table:
+        get = lambda name: table.column(name).to_numpy()
+        order = np.argsort(get("token"), kind="stable")
+        token, size, l, comp = (get(c)[order] for c in ("token", "size", "l", "comp"))
+        name, vertex = np.unique(get("node")[order], return_inverse=True)
+        _, at = np.unique(vertex, return_index=True)
+        v_size, v_l, v_comp = size[at].astype(np.int64), l[at], comp[at]
+        cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
+        key, count, held, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+        def settle() -> None:
+            nonlocal key, count, held, waiting
+            new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+            both = np.concatenate((key, new))
+            key, inverse = np.unique(both, return_inverse=True)
+            count = np.bincount(inverse, np.concatenate((count, n)), minlength=len(key)).astype(np.int64)
+            held, waiting = [], 0
+
+        for first, end in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            own = np.sort(vertex[first:end])
+            for k in range(0, len(own), 512):  # a long list in strips
+                left, right = own[k : k + 512, None], own[None, k:]
+                fits = (left < right) & (v_comp[left] != v_comp[right]) & (100 * np.minimum(v_size[left], v_size[right]) >= percent * np.maximum(v_size[left], v_size[right]))
+                i, j = np.nonzero(fits)
+                held.append(own[k : k + 512][i].astype(np.int64) << 32 | own[k:][j])
+                waiting += len(i)
+                if waiting > 1_000_000:
+                    settle()
+        settle()
+        i, j = key >> 32, key & 0xFFFFFFFF
+        columns = [pa.array(name[i]), pa.array(name[j]), pa.array(v_comp[i]), pa.array(v_comp[j]), pa.array(count), pa.array(np.minimum(v_l[i], v_l[j]).astype(np.int32))]
+        return pa.table(columns, names=["a", "b", "a_comp", "b_comp", "n", "l"])
+
+    groups = tokens.join(dealt, "token").groupBy("leader", "part").applyInArrow(run, "a long, b long, a_comp long, b_comp long, n long, l int")
+    return groups.groupBy("a", "b", "a_comp", "b_comp").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l")
 
 
 def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4) -> DataFrame:
@@ -288,7 +328,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
         if not todo[0]:
             break
         if turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
-            found.append(materialise(_verified(_candidates(tokens.join(lists.select("token"), "token"), percent), sets, percent), "links"))
+            found.append(materialise(_verified(_candidates(tokens, lists, percent), sets, percent), "links"))
             break
         kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
         last = F.struct(F.col("y.comp").alias("comp"), F.negate("y.node").alias("node"), F.col("y.size").alias("size"))
@@ -322,7 +362,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int
     table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = 64
+    buckets = 128
     while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
         buckets *= 2
     sets = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, text_col), buckets), percent), "sets")

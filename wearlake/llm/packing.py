@@ -63,6 +63,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                      pa.array(np.full(len(doc), part, np.int32)), pa.array(number)],
                     [id_col, "piece", "start", "length", "ids_crc32", "part", "number"],
                 )
+        tv.trim()
 
     return docs.select(id_col, text_col).mapInArrow(cut, f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long, part int, number long")
 

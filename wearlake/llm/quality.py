@@ -158,6 +158,7 @@ def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(names.index(c)) for c in out_names), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*out_names, "score", "predicted"]
             )
+        tv.trim()
 
     kinds = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in out_names)
     return base.mapInArrow(score, f"{kinds}, score double, predicted int")

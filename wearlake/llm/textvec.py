@@ -12,6 +12,7 @@ combination of its words' hashes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def trim() -> None:
+    """Give freed memory back to the system; called when a task's input ends, since workers live on."""
+    if len(_powers[0]) > 1 << 21:  # grown for one very long text
+        _powers[:] = [np.ones(1, _U), np.ones(1, _U)]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Avalanche of each 64-bit value (a bijection)."""
     x = x ^ (x >> _U(32))
@@ -64,7 +76,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a column into (first row, end row, bytes, offsets) of about ``most`` bytes; a longer text stands alone."""
     data, offsets = column_bytes(column)
     n, row = len(offsets) - 1, 0

@@ -41,5 +41,6 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate(sizes)), pa.array(n), pa.array(n > limit)], [id_col, "n_bytes", "n_tokens", "over_limit"]
             )
+        tv.trim()
 
     return docs.select(id_col, text_col).mapInArrow(count, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")

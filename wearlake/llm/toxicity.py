@@ -193,6 +193,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
             grade = np.argmax(edge[:, :-1] - edge[:, 1:], axis=1).astype(np.int32)
             result = [pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(grade), pa.array(above[:, 0] >= 0.5)]
             yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in out_names), *result], [*out_names, *added])
+        tv.trim()
 
     kinds = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in out_names)
     return base.mapInArrow(score, f"{kinds}, p_toxic double, severity double, grade int, toxic boolean")
