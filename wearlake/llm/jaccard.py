@@ -313,15 +313,17 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
     Star rounds go on, ``rounds`` at most, while the pairs left in posting lists
     would be more than ``pairs_per_posting`` times the postings.  In a round
     every node is verified against the leader that most of its lists have; a
-    list's leaders are the smallest nodes of its first and of its last
-    component.  A link relabels the later component as the earlier one; lists
+    list's leaders are a node of its first and one of its last component, drawn
+    anew in each round.  A link relabels the later component as the earlier one; lists
     inside one component are settled and go.
     """
     tokens = sets.select("node", "size", "l", F.col("node").alias("comp"), F.explode("prefix").alias("token"))
     found = []
     for turn in range(rounds + 1):
+        # another member of a component leads in each round, the same one in most lists of a group
+        draw = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
         lists = tokens.groupBy("token").agg(
-            F.count("*").alias("n"), F.min(F.struct("comp", "node", "size")).alias("x"), F.max(F.struct("comp", F.negate("node").alias("node"), "size")).alias("y")
+            F.count("*").alias("n"), F.min(F.struct("comp", draw.alias("draw"), "node", "size")).alias("x"), F.max(F.struct("comp", draw.alias("draw"), "node", "size")).alias("y")
         )
         lists = materialise(lists.filter("x.comp < y.comp"), "lists")
         todo = lists.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
@@ -331,8 +333,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
             found.append(materialise(_verified(_candidates(tokens, lists, percent), sets, percent), "links"))
             break
         kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
-        last = F.struct(F.col("y.comp").alias("comp"), F.negate("y.node").alias("node"), F.col("y.size").alias("size"))
-        votes = kept.select("node", "size", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(last).alias("to"))
+        votes = kept.select("node", "size", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
         votes = votes.filter(F.least("size", "to.size") * 100 >= F.greatest("size", "to.size") * percent)
         votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(F.max(F.struct("n", "to")).alias("best"))
         node, to = F.col("node"), F.col("best.to.node")
