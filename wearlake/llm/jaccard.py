@@ -263,6 +263,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int = 100_000) -> DataFrame:
     """All pairs of different components that share enough prefix shingles and have sizes that allow a link.
 
+    |a & b| is at most the number of shingles that either node shares with any
+    other node, so pairs are left out for which even that would not do.
+
     Lists with the same leader mostly hold the same nodes, so they are counted
     together, in groups of about ``group`` postings: a pair is emitted once per
     group, not once per shared shingle.
@@ -273,10 +276,10 @@ def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int =
     def run(table: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
         order = np.argsort(get("token"), kind="stable")
-        token, size, l, comp = (get(c)[order] for c in ("token", "size", "l", "comp"))
+        token, size, l, comp, shared = (get(c)[order] for c in ("token", "size", "l", "comp", "shared"))
         name, vertex = np.unique(get("node")[order], return_inverse=True)
         _, at = np.unique(vertex, return_index=True)
-        v_size, v_l, v_comp = size[at].astype(np.int64), l[at], comp[at]
+        v_size, v_l, v_comp, v_shared = size[at].astype(np.int64), l[at], comp[at], shared[at].astype(np.int64)
         cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
         key, count, held, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
@@ -292,7 +295,7 @@ def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int =
             own = np.sort(vertex[first:end])
             for k in range(0, len(own), 512):  # a long list in strips
                 left, right = own[k : k + 512, None], own[None, k:]
-                fits = (left < right) & (v_comp[left] != v_comp[right]) & (100 * np.minimum(v_size[left], v_size[right]) >= percent * np.maximum(v_size[left], v_size[right]))
+                fits = (left < right) & (v_comp[left] != v_comp[right]) & ((100 + percent) * np.minimum(v_shared[left], v_shared[right]) >= percent * (v_size[left] + v_size[right]))
                 i, j = np.nonzero(fits)
                 held.append(own[k : k + 512][i].astype(np.int64) << 32 | own[k:][j])
                 waiting += len(i)
@@ -312,20 +315,23 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
 
     Star rounds go on, ``rounds`` at most, while the pairs left in posting lists
     would be more than ``pairs_per_posting`` times the postings.  In a round
-    every node is verified against the leader that most of its lists have; a
-    list's leaders are a node of its first and one of its last component, drawn
+    every node is verified against the leader that most of its lists have.  In
+    the first round a list's leader is the node with the least part of shingles
+    that nobody else has, next to which the copies of a text lie closest; later,
+    its leaders are a node of its first and one of its last component, drawn
     anew in each round.  A link relabels the later component as the earlier one; lists
     inside one component are settled and go.
     """
-    tokens = sets.select("node", "size", "l", F.col("node").alias("comp"), F.explode("prefix").alias("token"))
+    shared = F.expr("cast(octet_length(shingles) div 8 as int)")
+    tokens = sets.select("node", "size", "l", shared.alias("shared"), F.col("node").alias("comp"), F.explode("prefix").alias("token"))
     found = []
     for turn in range(rounds + 1):
         # another member of a component leads in each round, the same one in most lists of a group
         draw = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-        lists = tokens.groupBy("token").agg(
-            F.count("*").alias("n"), F.min(F.struct("comp", draw.alias("draw"), "node", "size")).alias("x"), F.max(F.struct("comp", draw.alias("draw"), "node", "size")).alias("y")
-        )
-        lists = materialise(lists.filter("x.comp < y.comp"), "lists")
+        end = F.struct("comp", draw.alias("draw"), "node", "size", "shared")
+        lists = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(end).alias("low"), F.max(end).alias("high"), F.min_by(end, F.struct(1 - F.col("shared") / F.col("size"), "node")).alias("close"))
+        x, y = (F.col("low"), F.col("high")) if turn else (F.col("close"), F.when(F.col("close.comp") < F.col("high.comp"), F.col("high")).otherwise(F.col("low")))
+        lists = materialise(lists.filter("low.comp < high.comp").select("token", "n", x.alias("x"), y.alias("y")), "lists")
         todo = lists.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
         if not todo[0]:
             break
@@ -333,8 +339,8 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
             found.append(materialise(_verified(_candidates(tokens, lists, percent), sets, percent), "links"))
             break
         kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
-        votes = kept.select("node", "size", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
-        votes = votes.filter(F.least("size", "to.size") * 100 >= F.greatest("size", "to.size") * percent)
+        votes = kept.select("node", "size", "shared", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
+        votes = votes.filter(F.least("shared", "to.shared") * (100 + percent) >= (F.col("size") + F.col("to.size")) * percent)
         votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(F.max(F.struct("n", "to")).alias("best"))
         node, to = F.col("node"), F.col("best.to.node")
         pairs = votes.select(
@@ -343,7 +349,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
         ).distinct()
         found.append(materialise(_verified(pairs, sets, percent), "links"))
         later = found[-1].groupBy(F.greatest("a_comp", "b_comp").alias("comp")).agg(F.min(F.least("a_comp", "b_comp")).alias("to_comp"))
-        tokens = kept.join(later, "comp", "left").select("node", "size", "l", F.coalesce("to_comp", "comp").alias("comp"), "token")
+        tokens = kept.join(later, "comp", "left").select("node", "size", "l", "shared", F.coalesce("to_comp", "comp").alias("comp"), "token")
         release(spark)
     out = spark.createDataFrame([], "a long, b long")
     for links in found:
