@@ -176,6 +176,20 @@ def test_jaccard(spark, hot, pairs):
     assert got["component_id"].tolist() == want and got["n_shingles"].tolist() == sizes
 
 
+def test_jaccard_bitmap_bound():
+    rng = np.random.default_rng(3)
+    maps, sets = [], []
+    for size, width in ((90, 1024), (100, 1024), (120, 1024), (130, 2048), (40, 512)):
+        own = rng.choice(160, size, replace=False).astype(np.uint64)
+        place = (textvec.mix64(own) & np.uint64(width - 1)).astype(np.int64)
+        maps.append(np.packbits(np.bincount(place, minlength=width) & 1, bitorder="little").view(np.uint64))
+        sets.append(set(own.tolist()))
+    i, j = np.triu_indices(len(maps), 1)
+    found = jaccard.differing(maps, i, j)
+    true = np.array([len(sets[a] ^ sets[b]) for a, b in zip(i, j)])
+    assert (found <= true).all() and (found >= 0.6 * true).all() and ((true - found) % 2 == 0).all()
+
+
 def test_jaccard_awkward(docs, empty):
     got = jaccard.jaccard_components(docs).toPandas()
     assert len(got) == len(TEXTS) + 1 and set(got[got.doc_id.isin([7, 8])]["component_id"]) == {7}

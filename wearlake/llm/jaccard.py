@@ -16,8 +16,9 @@ node from the start (its 64-bit signature), so copies cost nothing later.
    verified against its most frequent leaders.  Links found merge components,
    which settles large groups of near copies with a number of pairs in
    proportion to the postings.  Then all pairs of different components that
-   share enough prefix shingles are verified, so no link between components is
-   lost; links inside a component can't change it.
+   share enough prefix shingles and whose bitmaps of shingle parities are close
+   enough are verified, so no link between components is lost; links inside a
+   component can't change it.
 
 Sets are compared by 64-bit shingle hashes less a few bits (48 and the
 bucket's); equal hashes count as equal shingles, equal signatures as equal
@@ -260,11 +261,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, a_comp long, b_comp long")
 
 
-def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int = 100_000) -> DataFrame:
-    """All pairs of different components that share enough prefix shingles and have sizes that allow a link.
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(node, bits): the parity of a node's shared shingles in each of 8 or more hashed places a shingle, a power of 2."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            maps = []
+            for x in batch.column(1):
+                value = np.frombuffer(x.as_buffer(), np.uint64)
+                width = max(512, 1 << (8 * len(value) - 1).bit_length())
+                place = (tv.mix64(value) & np.uint64(width - 1)).astype(np.int64)
+                maps.append(np.packbits(np.bincount(place, minlength=width) & 1, bitorder="little"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(maps)], ["node", "bits"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, bits binary")
+
+
+def differing(maps: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Places in which the bitmaps (64-bit words) of vertices i and j differ, the wider one folded to the narrower; at most |i ^ j|."""
+    width = np.array([len(x) for x in maps], np.int64)
+    narrow, out = np.minimum(width[i], width[j]), np.zeros(len(i), np.int64)
+    for words in np.unique(narrow).tolist():
+        at = np.flatnonzero(narrow == words)
+        own, row = np.unique(np.concatenate((i[at], j[at])), return_inverse=True)
+        bits = np.stack([np.bitwise_xor.reduce(maps[v].reshape(-1, words), axis=0) for v in own.tolist()])
+        left, right = row[: len(at)], row[len(at) :]
+        step = max(1, (1 << 20) // words)
+        for k in range(0, len(at), step):
+            out[at[k : k + step]] = np.bitwise_count(bits[left[k : k + step]] ^ bits[right[k : k + step]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 100_000) -> DataFrame:
+    """All pairs of different components that share enough prefix shingles and whose sizes and bitmaps allow a link.
 
     |a & b| is at most the number of shingles that either node shares with any
-    other node, so pairs are left out for which even that would not do.
+    other node, and at most half of what is left of both numbers' sum without
+    the places in which the bitmaps differ; pairs are left out for which even
+    that would not do.
 
     Lists with the same leader mostly hold the same nodes, so they are counted
     together, in groups of about ``group`` postings: a pair is emitted once per
@@ -273,19 +307,23 @@ def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int =
     totals = lists.groupBy(F.col("x.node").alias("leader")).agg(F.ceil(F.sum("n") / group).alias("parts"))
     dealt = lists.select("token", F.col("x.node").alias("leader")).join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table: pa.Table, parity: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
         order = np.argsort(get("token"), kind="stable")
         token, size, l, comp, shared = (get(c)[order] for c in ("token", "size", "l", "comp", "shared"))
         name, vertex = np.unique(get("node")[order], return_inverse=True)
         _, at = np.unique(vertex, return_index=True)
         v_size, v_l, v_comp, v_shared = size[at].astype(np.int64), l[at], comp[at], shared[at].astype(np.int64)
+        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in parity.column("bits").take(np.argsort(parity.column("member").to_numpy()))]
         cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
         key, count, held, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
         def settle() -> None:
             nonlocal key, count, held, waiting
             new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
+            i, j = new >> 32, new & 0xFFFFFFFF
+            close = (100 + percent) * (v_shared[i] + v_shared[j] - differing(maps, i, j)) >= 2 * percent * (v_size[i] + v_size[j])
+            new, n = new[close], n[close]
             both = np.concatenate((key, new))
             key, inverse = np.unique(both, return_inverse=True)
             count = np.bincount(inverse, np.concatenate((count, n)), minlength=len(key)).astype(np.int64)
@@ -306,7 +344,10 @@ def _candidates(tokens: DataFrame, lists: DataFrame, percent: int, group: int =
         columns = [pa.array(name[i]), pa.array(name[j]), pa.array(v_comp[i]), pa.array(v_comp[j]), pa.array(count), pa.array(np.minimum(v_l[i], v_l[j]).astype(np.int32))]
         return pa.table(columns, names=["a", "b", "a_comp", "b_comp", "n", "l"])
 
-    groups = tokens.join(dealt, "token").groupBy("leader", "part").applyInArrow(run, "a long, b long, a_comp long, b_comp long, n long, l int")
+    members = tokens.join(dealt, "token").select("leader", "part", "token", "node", "size", "l", "shared", "comp")
+    parity = members.select("leader", "part", "node").distinct().join(_bitmaps(sets), "node")
+    parity = parity.select(F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("node").alias("member"), "bits")
+    groups = members.groupBy("leader", "part").cogroup(parity.groupBy("of", "of_part")).applyInArrow(run, "a long, b long, a_comp long, b_comp long, n long, l int")
     return groups.groupBy("a", "b", "a_comp", "b_comp").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l")
 
 
@@ -336,7 +377,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
         if not todo[0]:
             break
         if turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
-            found.append(materialise(_verified(_candidates(tokens, lists, percent), sets, percent), "links"))
+            found.append(materialise(_verified(_candidates(tokens, lists, sets, percent), sets, percent), "links"))
             break
         kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
         votes = kept.select("node", "size", "shared", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
