@@ -360,8 +360,8 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
     the first round a list's leader is the node with the least part of shingles
     that nobody else has, next to which the copies of a text lie closest; later,
     its leaders are a node of its first and one of its last component, drawn
-    anew in each round.  A link relabels the later component as the earlier one; lists
-    inside one component are settled and go.
+    anew in each round.  Components that links join become one, named by the
+    smallest; lists inside one component are settled and go.
     """
     shared = F.expr("cast(octet_length(shingles) div 8 as int)")
     tokens = sets.select("node", "size", "l", shared.alias("shared"), F.col("node").alias("comp"), F.explode("prefix").alias("token"))
@@ -389,7 +389,8 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
             F.when(node < to, F.col("comp")).otherwise(F.col("best.to.comp")).alias("a_comp"), F.when(node < to, F.col("best.to.comp")).otherwise(F.col("comp")).alias("b_comp"),
         ).distinct()
         found.append(materialise(_verified(pairs, sets, percent), "links"))
-        later = found[-1].groupBy(F.greatest("a_comp", "b_comp").alias("comp")).agg(F.min(F.least("a_comp", "b_comp")).alias("to_comp"))
+        merged = connected_components(found[-1], "a_comp", "b_comp").filter("node <> component")
+        later = merged.select(F.col("node").alias("comp"), F.col("component").alias("to_comp"))
         tokens = kept.join(later, "comp", "left").select("node", "size", "l", "shared", F.coalesce("to_comp", "comp").alias("comp"), "token")
         release(spark)
     out = spark.createDataFrame([], "a long, b long")
