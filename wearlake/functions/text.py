@@ -63,17 +63,25 @@ def _first_match(text: Column, table: dict[str, list[str]]) -> Column:
     return out
 
 
-def action(text: Column, motion: Column, stationary: Column) -> tuple[Column, Column]:
-    """(action_type, confidence): keywords in order, else from motion."""
-    word = _first_match(F.lower(F.coalesce(text, F.lit(""))), ACTIONS)
+def action_word(lowered: Column) -> Column:
+    """The first action with a keyword in a lower-case text, else null."""
+    return _first_match(lowered, ACTIONS)
+
+
+def scenario_word(lowered: Column) -> Column:
+    """The first scenario with a keyword in a lower-case text, else null."""
+    return _first_match(lowered, SCENARIOS)
+
+
+def action(word: Column, motion: Column, stationary: Column) -> tuple[Column, Column]:
+    """(action_type, confidence): the keyword's action, else from motion."""
     kind = F.coalesce(word, F.when(stationary, "idle").when(motion.isin("high", "medium"), "navigate").otherwise("other"))
     sure = F.when(word.isNotNull(), 0.85).when(stationary, 0.6).when(motion == "high", 0.5).when(motion == "medium", 0.4).otherwise(0.3)
     return kind, sure
 
 
-def scenario(text: Column, speed_kmh: Column, default: str) -> Column:
-    """Keywords in order, else the mean speed, else the default; a null speed means no GPS."""
-    word = _first_match(F.lower(F.coalesce(text, F.lit(""))), SCENARIOS)
+def scenario(word: Column, speed_kmh: Column, default: str) -> Column:
+    """The keyword's scenario, else by the mean speed, else the default; a null speed means no GPS."""
     return F.coalesce(word, F.when(speed_kmh > 15, "driving").when(speed_kmh > 3, "food_delivery").otherwise(default))
 
 

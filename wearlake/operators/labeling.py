@@ -19,8 +19,11 @@ def blend(action: Column, motion: Column, gps: Column) -> Column:
 def auto_label(segments: DataFrame, default: str = "other") -> DataFrame:
     """action_type, scenario, instructions, confidence and sources of segments with text, motion_level, motion_conf,
     is_stationary, speed_kmh (null: no GPS) and gps_conf."""
-    action, sure = tx.action(F.col("text"), F.col("motion_level"), F.col("is_stationary"))
-    out = segments.withColumn("action_type", action).withColumn("action_conf", sure).withColumn("scenario", tx.scenario(F.col("text"), F.col("speed_kmh"), default))
+    # columns of their own, so that a whole text is lowered and searched once
+    out = segments.withColumn("_low", F.lower(F.coalesce("text", F.lit(""))))
+    out = out.withColumns({"_action": tx.action_word(F.col("_low")), "_scenario": tx.scenario_word(F.col("_low"))}).drop("_low")
+    action, sure = tx.action(F.col("_action"), F.col("motion_level"), F.col("is_stationary"))
+    out = out.withColumns({"action_type": action, "action_conf": sure, "scenario": tx.scenario(F.col("_scenario"), F.col("speed_kmh"), default)}).drop("_action", "_scenario")
     hi, en = tx.instructions(F.col("text"), F.col("action_type"))
     said = F.coalesce(F.col("text") != "", F.lit(False))
     sources = F.array_join(F.array_compact(F.array(F.lit("motion"), F.when(said, F.lit("whisper")), F.when(F.col("speed_kmh").isNotNull(), F.lit("gps")))), ",")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.functions import geo, text, vector
-from wearlake.operators import assembly, catalog, folds, intervals, labeling, series, validation
+from wearlake.operators import assembly, catalog, folds, intervals, labeling, series, terms, validation
 from wearlake.plans import standins as st
 from wearlake.sources import writers
 
@@ -280,7 +280,7 @@ def _segments(spark, d) -> DataFrame:
     docs = st.read(spark, d, "documents")
     k = F.col("doc_id")
     return docs.select(
-        "doc_id", F.substring("text", 1, 60).alias("text"), F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), (k % 3 + 1).cast("int")).alias("motion_level"),
+        "doc_id", "text", F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), (k % 3 + 1).cast("int")).alias("motion_level"),
         (k % 4 == 0).alias("is_stationary"), F.when(k % 5 != 0, (k % 25).cast("double")).alias("speed_kmh"), F.lit(0.7).alias("motion_conf"), F.lit(0.5).alias("gps_conf"),
     )
 
@@ -327,8 +327,7 @@ SELECT doc_id, slot::BIGINT AS slot, n, round(n / sqrt(sum(n * n) OVER (PARTITIO
 def embed_text_tf(spark, d):
     from pyspark.sql import Window
 
-    docs = st.read(spark, d, "documents").select("doc_id", F.explode(text.embed_terms(F.substring("text", 1, 200))).alias("slot"))
-    n = docs.groupBy("doc_id", "slot").agg(F.count("*").alias("n"))
+    n = terms.embed_term_counts(st.read(spark, d, "documents")).groupBy("doc_id", "slot").agg(F.sum("n").alias("n"))
     return n.withColumn("weight", F.round(F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy("doc_id"))), 6))
 
 
