@@ -69,3 +69,22 @@ def test_terms_of_whole_texts(spark, tmp_path):
     for r in got.itertuples():
         n, c = want[r.doc_id, r.slot]
         assert r.n == n and abs(r.weight - n / math.sqrt(sum(x * x for x in c.values()))) < 1e-6
+
+
+def test_overlaps_of_whole_conversations(spark, tmp_path):
+    long = " ".join(f"w{k}" for k in range(60))
+    turns = [(1, k, f"{long} t{k}") for k in range(12)] + [(2, 0, "only"), (3, 0, "a"), (3, 7, "b")]
+    tables = {"conversations": (turns, "conv_id long, turn long, text string")}
+    texts = run(spark, "overlap_text", tmp_path, **tables)
+    best = core.queries()["overlap_best"](spark, str(tmp_path)).toPandas()
+    want, top = {}, {}
+    for c in (1, 2, 3):
+        mine = [(o * 2.0, o * 2.0 + 2.5, t) for k, o, t in turns if k == c]
+        for s in range(math.ceil(max(b for _, b, _ in mine) / 3.2)):
+            over = [(min(b, s * 3.2 + 3.2) - max(a, s * 3.2), t) for a, b, t in mine]
+            want[c, s] = " ".join(t for x, t in over if x > 0.1)
+            x, t = max(over, key=lambda p: p[0])
+            top[c, s] = t if x > 0 else "record egocentric task"
+    assert {(r.session, r.segment): r.text for r in texts.itertuples()} == want
+    assert {(r.session, r.segment): r.text for r in best.itertuples()} == top
+    assert all(any(t in x for x in want.values()) for _, _, t in turns)

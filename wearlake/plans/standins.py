@@ -38,16 +38,16 @@ FRAMES = SENSOR + ", f AS (SELECT *, row_number() OVER (PARTITION BY session ORD
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as spoken intervals of 2.5 s, every 2 s."""
     c = read(spark, sf_dir, "conversations")
-    return c.select(F.col("conv_id").alias("session"), F.col("turn").alias("ord"), (F.col("turn") * 2.0).alias("r_start"), (F.col("turn") * 2.0 + 2.5).alias("r_end"), F.substring("text", 1, 40).alias("text"))
+    return c.select(F.col("conv_id").alias("session"), F.col("turn").alias("ord"), (F.col("turn") * 2.0).alias("r_start"), (F.col("turn") * 2.0 + 2.5).alias("r_end"), "text")
 
 
 TRANSCRIPTS = "r AS (SELECT conv_id AS session, turn AS ord, turn * 2e0 AS r_start, turn * 2e0 + 2.5e0 AS r_end, substr(text, 1, 40) AS text FROM conversations)"
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two segments of 3.2 s per conversation."""
-    c = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("session")).distinct()
-    return c.withColumn("segment", F.explode(F.array(F.lit(0), F.lit(1)))).select("session", F.col("segment").cast("long").alias("segment"), (F.col("segment") * 3.2).alias("l_start"), (F.col("segment") * 3.2 + 3.2).alias("l_end"))
+    """Segments of 3.2 s per conversation, up to the end of its last turn."""
+    c = transcripts(spark, sf_dir).groupBy("session").agg(F.max("r_end").alias("end"))
+    return c.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("end") / 3.2) - 1))).select("session", "segment", (F.col("segment") * 3.2).alias("l_start"), (F.col("segment") * 3.2 + 3.2).alias("l_end"))
 
 
 SPANS = "l AS (SELECT session, segment, segment * 3.2e0 AS l_start, segment * 3.2e0 + 3.2e0 AS l_end FROM (SELECT DISTINCT conv_id AS session FROM conversations), (VALUES (0::BIGINT), (1::BIGINT)) v(segment))"
