@@ -7,6 +7,7 @@ from collections import Counter
 
 import pandas as pd
 
+from tests.compare import duck, rows
 from wearlake import queries as core
 from wearlake.functions import text as tx
 
@@ -88,3 +89,16 @@ def test_overlaps_of_whole_conversations(spark, tmp_path):
     assert {(r.session, r.segment): r.text for r in texts.itertuples()} == want
     assert {(r.session, r.segment): r.text for r in best.itertuples()} == top
     assert all(any(t in x for x in want.values()) for _, _, t in turns)
+
+
+def test_windows_of_all_frames(spark, tmp_path):
+    t0 = pd.Timestamp("2024-01-01")
+    events = [(k, 3 if k < 70 else 900, (t0 + pd.Timedelta(seconds=k)).to_pydatetime(), k / 4, "a") for k in range(100)]
+    got = run(spark, "audio_window", tmp_path, events=(events, "event_id long, user_id long, ts timestamp_ntz, value double, event_type string"))
+    want = {(u, k - (70 if u == 900 else 0)): (v * 2, 0.0 if k in (69, 99) else v * 2 + 0.5) for k, u, _, v, _ in events}
+    assert len(got) == 100 and {(r.session, r.frame): (r.w0, r.w1) for r in got.itertuples()} == want
+
+
+def test_windows_against_sql_without_filter(spark):
+    want = duck(core.oracle_sql()["audio_window"].replace(" WHERE session < 5 AND frame < 40", ""), SF)
+    assert rows(core.queries()["audio_window"](spark, SF).toPandas()) == rows(want)

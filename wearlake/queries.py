@@ -410,9 +410,7 @@ def validation_report(spark, d):
 
 @query(f"""WITH {st.FRAMES}, p AS (SELECT * FROM f WHERE session < 5 AND frame < 40) SELECT session, frame, round(value * 2, 6) AS w0, round(coalesce(lead(value) OVER (PARTITION BY session ORDER BY frame), 0) * 2, 6) AS w1 FROM p""")
 def audio_window(spark, d):
-    f = st.frames(spark, d).filter("session < 5 AND frame < 40")
-    pcm = f.groupBy("session").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples"))
-    w = intervals.window_samples(f.select("session", "frame").join(pcm, "session").withColumn("at", F.col("frame").cast("int")), "at", 2)
+    w = intervals.window_rows(st.frames(spark, d), "frame", "value", 2)
     return w.select("session", "frame", F.round(F.col("window")[0] * 2, 6).alias("w0"), F.round(F.col("window")[1] * 2, 6).alias("w1"))
 
 
