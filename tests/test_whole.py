@@ -10,6 +10,7 @@ import pandas as pd
 from tests.compare import duck, rows
 from wearlake import queries as core
 from wearlake.functions import text as tx
+from wearlake.operators import series
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,3 +103,27 @@ def test_windows_of_all_frames(spark, tmp_path):
 def test_windows_against_sql_without_filter(spark):
     want = duck(core.oracle_sql()["audio_window"].replace(" WHERE session < 5 AND frame < 40", ""), SF)
     assert rows(core.queries()["audio_window"](spark, SF).toPandas()) == rows(want)
+
+
+ORDERS = "o_orderkey long, o_custkey long, o_orderpriority string, o_orderstatus string, o_totalprice double"
+
+
+def test_split_of_all_episodes(spark, tmp_path):
+    orders = [(k * 7 % 101, k, "1-URGENT" if k % 5 == 0 else "5-LOW", "O", 1.0) for k in range(101)]
+    got = run(spark, "train_val_split", tmp_path, orders=(orders, ORDERS))
+    assert dict(zip(got.id, got.split)) == {k: "train" if k < 80 else "val" for k in range(101)}
+
+
+def test_split_counts_rows_not_keys(spark):
+    for n, share in ((0, 0.8), (1, 0.8), (1, 0.0), (7, 0.29), (500, 0.29), (500, 1.0)):
+        df = spark.createDataFrame([(f"é{k % 37:03d}" if k % 11 else None, k % 5, k) for k in range(n)], "a string, b long, k long")
+        got = series.train_share(df, ["a", "b"], share, 8, 64).toPandas()
+        keys = [((r.a is not None and r.a == r.a, r.a if isinstance(r.a, str) else ""), r.b) for r in got.itertuples()]
+        train = [k for k, s in zip(keys, got.split) if s == "train"]
+        assert len(got) == n and len(train) == min(n, max(1, int(n * share)))
+        assert sorted(train) == sorted(keys)[: len(train)]
+
+
+def test_split_has_no_global_window(spark):
+    plan = series.train_share(spark.range(1000), ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan

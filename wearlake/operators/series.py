@@ -128,9 +128,26 @@ def deltas(df: DataFrame, columns: list[str], first: list[float], part: str = "s
     return df.select("*", *((F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(f))).alias(f"d_{c}") for c, f in zip(columns, first)))
 
 
-def train_share(df: DataFrame, order: list[str], share: float = 0.8) -> DataFrame:
-    """split: the first max(1, int(n * share)) rows in order are train, the rest validation.  The order is over the
-    file list, which is one small row per file."""
-    n = F.count("*").over(Window.partitionBy(F.lit(1)))
-    k = F.row_number().over(Window.orderBy(*order))
-    return df.withColumn("split", F.when(k <= F.greatest(F.lit(1), F.floor(n * share)), "train").otherwise("val"))
+def train_share(df: DataFrame, order: list[str], share: float = 0.8, ranges: int = 64, sample: int = 2048) -> DataFrame:
+    """split: the first max(1, int(n * share)) rows in order are train, the rest validation.
+
+    Rows go to key ranges between bounds drawn by hash; only their counts reach the driver, whose prefix sums say how
+    many rows of a range are train.  The rows of a key stay in one range.
+    """
+    names = [f"_o{k}" for k in range(len(order))]
+    keys = df.select(*(F.col(c).alias(n) for c, n in zip(order, names)))
+    drawn = keys.distinct().orderBy(F.xxhash64(*names), *names).limit(sample).orderBy(*names).collect()
+    bounds = drawn[:: -(-len(drawn) // ranges) or 1][1:]
+    kinds = {f.name: f.dataType for f in keys.schema}
+    key = F.struct(*(F.col(c).alias(n) for c, n in zip(order, names)))
+    part = F.lit(0)
+    for b in bounds:
+        part = part + (key >= F.struct(*(F.lit(b[n]).cast(kinds[n]).alias(n) for n in names))).cast("int")
+    ranged = df.withColumn("_range", part)
+    n = dict(ranged.groupBy("_range").count().collect())
+    left, first = max(1, int(sum(n.values()) * share)), {}
+    for r in sorted(n):
+        first[r], left = min(n[r], left), left - min(n[r], left)
+    of = F.create_map(*(F.lit(x) for r, k in first.items() for x in (r, k))) if first else F.create_map(F.lit(0), F.lit(0))
+    k = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("split", F.when(k <= of[F.col("_range")], "train").otherwise("val")).drop("_range")

@@ -185,7 +185,7 @@ def quat_delta(spark, d):
 
 @query(f"""WITH {st.EPISODES} SELECT id, CASE WHEN row_number() OVER (ORDER BY id) <= greatest(1, floor(count(*) OVER () * 0.8)) THEN 'train' ELSE 'val' END AS split FROM e WHERE scenario = '1-URGENT'""")
 def train_val_split(spark, d):
-    return series.train_share(st.episodes(spark, d).filter("scenario = '1-URGENT'").select("id"), ["id"])
+    return series.train_share(st.episodes(spark, d).select("id"), ["id"])
 
 
 @query(f"""WITH {st.EPISODES} SELECT session, id, (row_number() OVER (PARTITION BY session ORDER BY id) - 1 + 5)::BIGINT AS episode_index FROM e WHERE frames >= 10""")
