@@ -127,3 +127,23 @@ def test_split_counts_rows_not_keys(spark):
 def test_split_has_no_global_window(spark):
     plan = series.train_share(spark.range(1000), ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_literals_of_whole_vectors(spark, tmp_path):
+    vectors = [(1, [k / 7 for k in range(64)]), (2, [0.0] * 63 + [1.5]), (3, None)]
+    got = run(spark, "vector_literal", tmp_path, embeddings=(vectors, "vec_id long, embedding array<float>")).set_index("vec_id").literal
+    assert got[2] == "[" + "0.00000000," * 63 + "1.50000000]" and got[3] is None
+    real = pd.read_parquet(f"{SF}/embeddings.parquet")
+    got = core.queries()["vector_literal"](spark, SF).toPandas().set_index("vec_id").literal
+    assert got.to_dict() == {k: "[" + ",".join(f"{x:.8f}" for x in v) + "]" for k, v in zip(real.vec_id, real.embedding)}
+
+
+def test_tokens_and_mask(spark, tmp_path):
+    docs = [(1, "ab😀क" + "x" * 60), (2, "short"), (3, ""), (4, None)]
+    ids = lambda t: ",".join(str(ord(c) % 32000) for c in t[:50].ljust(50, "\0"))
+    mask = lambda t: ",".join(str(int(k < len(t))) for k in range(50))
+    got = run(spark, "tokenize_codepoints", tmp_path, documents=(docs, DOCS))
+    assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {k: (ids(t or ""), mask(t or "")) for k, t in docs}
+    real = pd.read_parquet(f"{SF}/documents.parquet")
+    got = core.queries()["tokenize_codepoints"](spark, SF).toPandas()
+    assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {k: (ids(t), mask(t)) for k, t in zip(real.doc_id, real.text)}

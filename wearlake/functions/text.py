@@ -122,5 +122,10 @@ def embed_terms(text: Column) -> Column:
 
 def code_points(text: Column, length: int, modulus: int = 32_000) -> Column:
     """Code points modulo ``modulus`` of the first ``length`` characters, zero-padded."""
-    chars = F.transform(F.filter(F.split(F.substring(F.coalesce(text, F.lit("")), 1, length), ""), lambda c: c != ""), lambda c: (F.ascii(c) % modulus).cast("long"))
-    return F.slice(F.concat(chars, F.array_repeat(F.lit(0).cast("long"), length)), 1, length)
+    text = F.coalesce(text, F.lit(""))
+    return F.transform(F.sequence(F.lit(1), F.lit(length)), lambda j: F.when(j <= F.length(text), F.ascii(F.substring(text, j, F.lit(1))) % modulus).otherwise(0).cast("long"))
+
+
+def attention_mask(text: Column, length: int) -> Column:
+    """1 for each of the first ``length`` places that holds a character, else 0."""
+    return F.transform(F.sequence(F.lit(1), F.lit(length)), lambda j: (j <= F.length(F.coalesce(text, F.lit("")))).cast("long"))

@@ -333,7 +333,8 @@ def embed_text_tf(spark, d):
 
 @query("""SELECT doc_id, array_to_string(list_transform(range(1, 17), lambda j: CASE WHEN j <= length(text) THEN unicode(substr(text, j::INT, 1)) % 32000 ELSE 0 END), ',') AS tokens FROM documents""")
 def tokenize_codepoints(spark, d):
-    return st.read(spark, d, "documents").select("doc_id", F.array_join(text.code_points(F.col("text"), 16).cast("array<string>"), ",").alias("tokens"))
+    ids, mask = text.code_points(F.col("text"), 50), text.attention_mask(F.col("text"), 50)
+    return st.read(spark, d, "documents").select("doc_id", *(F.array_join(c.cast("array<string>"), ",").alias(n) for c, n in ((ids, "tokens"), (mask, "mask"))))
 
 
 @query(f"""WITH {st.EPISODES} SELECT id, 'POINT(' || frames || ' ' || session || ')' AS point FROM e""")
@@ -343,7 +344,7 @@ def wkt_format(spark, d):
 
 @query("SELECT vec_id, '[' || array_to_string(list_transform(embedding[1:4], lambda x: printf('%.8f', x::DOUBLE)), ',') || ']' AS literal FROM embeddings")
 def vector_literal(spark, d):
-    return st.read(spark, d, "embeddings").select("vec_id", vector.literal(F.slice("embedding", 1, 4)).alias("literal"))
+    return st.read(spark, d, "embeddings").select("vec_id", vector.literal(F.col("embedding")).alias("literal"))
 
 
 def _annotation_json(spark, d) -> DataFrame:
