@@ -58,16 +58,72 @@ def test_token_file_round_trip(spark, docs, empty):
         assert got == want
 
 
-def test_range_coder_and_damage():
+def test_range_coder():
     rng = np.random.default_rng(0)
-    blocks = [rng.zipf(1.3, n).clip(0, 50256).astype(np.int64) for n in (0, 1, 700, 33)]
-    assert all((a == b).all() for a, b in zip(blocks, rangecoder.decode(rangecoder.encode(blocks), [len(b) for b in blocks])))
-    payload = bytearray(tokenfile.pack_chunk([1, None], np.array([600, 100]), np.concatenate(blocks)[:700]))
-    assert tokenfile.unpack_chunk(bytes(payload))[0] == [1, None]
-    payload[-3] ^= 1
-    payload[-200] ^= 8
-    with pytest.raises(ValueError):
-        tokenfile.unpack_chunk(bytes(payload))
+    repeated = np.tile(rng.integers(0, 50257, 50), 80)
+    cases = [rng.zipf(1.3, n).clip(0, 50256) for n in (0, 1, 700, 33, 4096)]
+    cases += [repeated[:3999], np.zeros(4096, int), np.array([7]), np.arange(4096) * 1_000_000, np.array([0, 4294967295] * 9), rng.integers(0, 1 << 32, 4096)]
+    for blocks in ([], cases[:1], cases, cases * 9):
+        coded = rangecoder.encode(blocks, lanes_at_once=4)
+        assert all(np.array_equal(a, b) for a, b in zip(blocks, rangecoder.decode(coded, [len(b) for b in blocks])))
+    assert len(rangecoder.encode([repeated])[0]) < 0.3 * len(repeated)  # repeats are predicted
+    assert rangecoder.encode(cases)[2] == rangecoder.encode([cases[2]])[0]  # a block depends on nothing else
+    for wrong in ([-1], [1 << 32], range(4097)):
+        with pytest.raises(ValueError):
+            rangecoder.encode([np.array(wrong)])
+
+
+def test_chunks_and_damage():
+    ids = np.random.default_rng(2).zipf(1.3, 9000).clip(0, 50256)
+    payload = tokenfile.pack_chunk([1, None, 3], np.array([600, 0, 8400]), ids)
+    names, lengths, back = tokenfile.unpack_chunk(payload)
+    assert names == [1, None, 3] and lengths.tolist() == [600, 0, 8400] and np.array_equal(back, ids)
+    assert tokenfile.unpack_chunk(tokenfile.pack_chunk([], np.zeros(0, int), ids[:0]))[0] == []
+    for at in (0, 9, 20, 40, len(payload) // 2, len(payload) - 9):
+        damaged = bytearray(payload)
+        damaged[at] ^= 8
+        with pytest.raises(ValueError):
+            tokenfile.unpack_chunk(bytes(damaged))
+    for size in (5, 100, len(payload) - 300):
+        with pytest.raises(ValueError):
+            tokenfile.unpack_chunk(payload[:size])
+
+
+def _thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_that_collide_in_polynomials(spark):
+    word = _thue_morse(1024)
+    texts = [word, word.translate(str.maketrans("ab", "ba"))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert [r["n_tokens"] for r in tokencount.token_counts(df, TOK).orderBy("doc_id").collect()] == [len(_ids(t)) for t in texts]
+    path = tokenfile.scratch_path(spark)
+    tokenfile.write_token_file(df, path, TOK)
+    assert [r["ids"] for r in tokenfile.read_token_file(spark, path).orderBy("doc_id").collect()] == [[*_ids(t), 0] for t in texts]
+    assert [r["ids_crc32"] for r in packing.pack(df, TOK).orderBy("doc_id").collect()] == [zlib.crc32(np.array([*_ids(t), 2], "<u4").tobytes()) for t in texts]
+    assert [r["component_id"] for r in jaccard.jaccard_components(df).orderBy("doc_id").collect()] == [0, 1]
+
+
+def test_pieces_with_equal_hashes(monkeypatch):
+    true = textvec.hash_words
+    monkeypatch.setattr(textvec, "hash_words", lambda words, begin, size: true(words, begin, size) & np.uint64(3))
+    data, offsets = textvec.column_bytes(pa.array([t or "" for t in TEXTS]))
+    ids, begin = bytebpe.LibraryIds(TOK).encode(data, offsets)
+    assert [ids[a:b].tolist() for a, b in zip(begin[:-1], begin[1:])] == [_ids(t) for t in TEXTS]
+    assert bytebpe.RankCounter(TOK).counts(data, offsets).tolist() == [len(_ids(t)) for t in TEXTS]
+
+
+def test_long_text_in_slices(monkeypatch):
+    text = "".join(t or "" for t in TEXTS) * 2 + "x" * 5000 + " y  z " + " \n" * 700 + "é " * 900 + "end of it"
+    data, offsets = textvec.column_bytes(pa.array([text]))
+    monkeypatch.setattr(bytebpe, "SLICE", 300)
+    assert bytebpe.LibraryIds(TOK).encode(data, offsets)[0].tolist() == _ids(text)
+    assert bytebpe.RankCounter(TOK).counts(data, offsets).tolist() == [len(_ids(text))]
+    assert len(bytebpe.slices(data)) > 50
 
 
 def test_packing(docs, empty):

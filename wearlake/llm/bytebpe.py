@@ -4,8 +4,10 @@
 letters, of numbers, of other characters, each with one leading blank, and
 white space) for many texts at once.  ``LibraryIds`` gives ids by the
 tokenizers library, ``RankCounter`` counts symbols by rank-synchronous merging.
-Both keep what they found for a piece in a cache that is emptied at a fixed
-size.  A text that holds an added special token is handed to the library whole.
+Both keep what they found for a piece in a table that is emptied at a fixed
+size; a piece is found by its hash and then compared byte by byte.  A text that
+holds an added special token is handed to the library whole.  A long text is
+worked through in slices cut where a piece surely begins.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from wearlake.llm import textvec as tv
 
 _U = np.uint64
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
-#: Pieces kept in a cache before it is emptied.
+#: Pieces kept in a table before it is emptied.
 CACHE_PIECES = 400_000
+#: Bytes of a text worked through at once.
+SLICE = 1 << 21
 
 
 @lru_cache(1)
@@ -113,6 +117,8 @@ class _Model:
         if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre.get("use_regex", True) or spec["normalizer"] or model.get("ignore_merges"):
             raise ValueError(f"not a plain byte-level BPE file: {path}")
         self.specials = [x["content"].encode() for x in spec["added_tokens"]]
+        self.leads = np.zeros(max(model["vocab"].values()) + 1, bool)  # ids whose bytes begin with a blank, which the byte-level alphabet writes as code point 288
+        self.leads[[i for t, i in model["vocab"].items() if t[0] == chr(288)]] = True
         self.vocab, self.merges = model["vocab"], [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
 
 
@@ -121,8 +127,29 @@ def model(path: str) -> _Model:
     return _Model(path)
 
 
+def slices(data: np.ndarray, most: int | None = None) -> list[int]:
+    """Cuts of one text, 0 and its size included, about ``most`` bytes apart where that can be.
+
+    A piece begins at a blank that stands between a character other than white
+    space and a letter, number or other character; only blanks between two
+    printable ASCII characters are taken.
+    """
+    most, cuts = most or SLICE, [0]
+    while len(data) - cuts[-1] > most:
+        at = cuts[-1] + most
+        for reach in (4096, len(data)):
+            part = data[at : at + reach + 1]
+            good = (part[1:-1] == 32) & (part[:-2] > 32) & (part[:-2] < 127) & (part[2:] > 32) & (part[2:] < 127)
+            if good.any():
+                break
+        else:
+            break
+        cuts.append(at + 1 + int(np.argmax(good)))
+    return [*cuts, len(data)]
+
+
 class _Pieces:
-    """Distinct pieces by 64-bit hash in a sorted table, extended in batches."""
+    """Distinct pieces in an open hash table, extended in batches.  Pieces with equal hashes are told apart by their bytes."""
 
     def __init__(self, path: str):
         self.model = model(path)
@@ -130,20 +157,82 @@ class _Pieces:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, _U)
+        self.words, self.begin_words, self.sizes = np.zeros(0, _U), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.table = np.full(1 << 21, -1, np.int32)  # more than 4 places a piece
+        self.odd: dict[bytes, int] = {}  # pieces whose hash another piece has
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece with each hash, -1 for none."""
+        mask = _U(len(self.table) - 1)
+        place = hashes & mask
+        out = self.table.take(place.astype(np.int64))
+        if not len(self.keys):
+            return out
+        left = np.flatnonzero((out >= 0) & (self.keys.take(out, mode="clip") != hashes))
+        while len(left):
+            place[left] = place[left] + _U(1) & mask
+            out[left] = self.table.take(place[left].astype(np.int64))
+            left = left[(out[left] >= 0) & (self.keys.take(out[left], mode="clip") != hashes[left])]
+        return out
+
+    def enter(self, hashes: np.ndarray, pieces: np.ndarray) -> None:
+        """Put new pieces with different hashes in the table."""
+        mask = _U(len(self.table) - 1)
+        place = (hashes & mask).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.table[place[left]] < 0]
+            self.table[place[free]] = pieces[free]
+            left = left[self.table[place[left]] != pieces[left]]
+            place[left] = place[left] + 1 & len(self.table) - 1
+
+    def append(self, hashes: np.ndarray, words: np.ndarray, begin: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Add pieces; returns their numbers."""
+        first = len(self.keys)
+        self.keys = np.concatenate((self.keys, hashes))
+        number = np.diff(begin)
+        at = np.repeat(begin[:-1] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+        self.words = np.concatenate((self.words, words[at]))
+        self.begin_words = np.concatenate((self.begin_words, self.begin_words[-1] + np.cumsum(number)))
+        self.sizes = np.concatenate((self.sizes, ends - starts))
+        self.add(data, starts, ends)
+        return np.arange(first, len(self.keys))
 
     def resolve(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The table's index of each piece; new pieces are added."""
-        hashes = tv.span_hashes(data, starts, ends)
+        """The number of each piece; new pieces are added."""
         if len(self.keys) > CACHE_PIECES:
             self.clear()
-        found, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        slot = np.minimum(np.searchsorted(self.keys, found), max(len(self.keys) - 1, 0))
-        new = self.keys[slot] != found if len(self.keys) else np.ones(len(found), bool)
-        if new.any():
-            pick = where[new]
-            self.add(found[new], data, starts[pick], ends[pick])
-            slot = np.searchsorted(self.keys, found)
-        return slot[inverse]
+        size = ends - starts
+        words, begin = tv.span_words(data, starts, ends)
+        hashes = tv.hash_words(words, begin, size)
+        slot = self.find(hashes)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            _, where = np.unique(hashes[new], return_index=True)
+            pick = np.sort(new[where])
+            while 4 * (len(self.keys) + len(pick)) > len(self.table):  # many new pieces at once
+                self.table = np.full(2 * len(self.table), -1, np.int32)
+                plain = np.setdiff1d(np.arange(len(self.keys)), np.fromiter(self.odd.values(), np.int64, len(self.odd)))
+                self.enter(self.keys[plain], plain.astype(np.int32))
+            number = begin[pick + 1] - begin[pick]
+            own = np.concatenate((np.zeros(1, np.int64), np.cumsum(number)))
+            at = np.repeat(begin[pick] - own[:-1], number) + np.arange(own[-1])
+            added = self.append(hashes[pick], words[at], own, data, starts[pick], ends[pick])
+            self.enter(hashes[pick], added.astype(np.int32))
+            slot[new] = self.find(hashes[new])
+        number = np.diff(begin)
+        stored = self.words.take(np.repeat(self.begin_words[slot] - begin[:-1], number) + np.arange(len(words)), mode="clip")
+        wrong = self.sizes[slot] != size
+        differing = np.flatnonzero(stored != words)
+        if len(differing):
+            wrong[np.searchsorted(begin, differing, side="right") - 1] = True
+        for k in np.flatnonzero(wrong).tolist():
+            piece = data[starts[k] : ends[k]].tobytes()
+            if piece not in self.odd:
+                own = slice(int(begin[k]), int(begin[k + 1]))
+                self.odd[piece] = int(self.append(hashes[k : k + 1], words[own], np.array([0, own.stop - own.start]), data, starts[k : k + 1], ends[k : k + 1])[0])
+            slot[k] = self.odd[piece]
+        return slot
 
     def with_special(self, data: np.ndarray, offsets: np.ndarray) -> set[int]:
         """Texts in which an added special token occurs."""
@@ -166,27 +255,56 @@ class LibraryIds(_Pieces):
         super().clear()
         self.begin, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
-    def add(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes()
-        texts = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())]
-        begin, length, flat = [], [], [self.flat]
-        base = len(self.flat)
-        for k in range(0, len(texts), 20_000):  # encodings of a part at a time are kept
-            ids = [x.ids for x in self.model.library.encode_batch_fast(texts[k : k + 20_000], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())))
-            begin.append(base + np.concatenate(([0], np.cumsum(sizes)[:-1])))
-            length.append(sizes)
-            base += int(sizes.sum())
-        self.flat = np.concatenate(flat)
-        merged = np.concatenate((self.keys, keys))
-        order = np.argsort(merged, kind="stable")
-        self.keys = merged[order]
-        self.begin = np.concatenate((self.begin, *begin))[order]
-        self.length = np.concatenate((self.length, *length))[order]
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has.
+
+        Pieces that begin with a blank and go on with something else are joined,
+        since the pattern parts them again where they were joined; a joined text
+        that doesn't come back in as many pieces is done piece by piece.
+        """
+        joins = [k for k, t in enumerate(texts) if len(t) > 1 and t[0] == " " and not t[1].isspace()]
+        alone = sorted(set(range(len(texts))).difference(joins))
+        flat, sizes, rows = [], np.zeros(len(texts), np.int64), []
+        groups = [joins[k : k + 256] for k in range(0, len(joins), 256)]
+        for own, coded in zip(groups, self.model.library.encode_batch_fast(["".join(texts[k] for k in own) for own in groups], add_special_tokens=False)):
+            ids = np.array(coded.ids, np.uint32)
+            heads = np.flatnonzero(self.model.leads[np.minimum(ids, len(self.model.leads) - 1)])
+            if len(heads) == len(own):
+                sizes[own] = np.diff(np.append(heads, len(ids)))
+                flat.append(ids)
+                rows += own
+            else:
+                alone += own
+        for k in range(0, len(alone), 20_000):  # encodings of a part at a time are kept
+            own = alone[k : k + 20_000]
+            ids = [x.ids for x in self.model.library.encode_batch_fast([texts[i] for i in own], add_special_tokens=False)]
+            sizes[own] = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[own].sum())))
+            rows += own
+        found = np.concatenate([np.zeros(0, np.uint32), *flat])
+        begin = np.empty(len(texts), np.int64)
+        begin[rows] = np.cumsum(sizes[rows]) - sizes[rows]
+        upto = np.cumsum(sizes)
+        return found[np.repeat(begin - (upto - sizes), sizes) + np.arange(len(found))], sizes
+
+    def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw = data.tobytes() if len(starts) > 8 else None
+        texts = [(raw[a:b] if raw is not None else data[a:b].tobytes()).decode() for a, b in zip(starts.tolist(), ends.tolist())]
+        for k in range(0, len(texts), 50_000):
+            ids, sizes = self.library(texts[k : k + 50_000])
+            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.length = np.concatenate((self.length, sizes))
+            self.flat = np.concatenate((self.flat, ids))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the index of each text's first (n + 1 values)."""
+        if len(offsets) == 2 and len(data) > SLICE:
+            cuts = slices(data)
+            ids = np.concatenate([self._encode(data[a:b], np.array([0, b - a]))[0] for a, b in zip(cuts[:-1], cuts[1:])])
+            return ids, np.array([0, len(ids)])
+        return self._encode(data, offsets)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, first = pretokens(data, offsets)
         ends = np.concatenate((starts[1:], [len(data)])) if len(starts) else starts
         slot = self.resolve(data, starts, ends) if len(starts) else starts
@@ -257,34 +375,35 @@ class RankCounter(_Pieces):
             symbols, owner = symbols[keep], owner[keep]
         return kept
 
-    def add(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         size = ends - starts
         upto = np.concatenate(([0], np.cumsum(size)))
         at = np.repeat(starts - upto[:-1], size) + np.arange(upto[-1])
         count = self.merged(self.symbol[data[at]], np.repeat(np.arange(len(size)), size), len(size))
-        merged = np.concatenate((self.keys, keys))
-        order = np.argsort(merged, kind="stable")
-        self.keys = merged[order]
-        self.count = np.concatenate((self.count, count))[order]
+        self.count = np.concatenate((self.count, count))
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text."""
+        if len(offsets) == 2 and len(data) > SLICE:
+            cuts = slices(data)
+            return np.array([sum(int(self._counts(data[a:b], np.array([0, b - a]))[0]) for a, b in zip(cuts[:-1], cuts[1:]))])
+        return self._counts(data, offsets)
+
+    def _counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         starts, first = pretokens(data, offsets)
+        upto = np.zeros(1, np.int64)
         if len(starts):
-            ends = np.concatenate((starts[1:], [len(data)]))
-            upto = np.concatenate(([0], np.cumsum(self.count[slot] if len(slot := self.resolve(data, starts, ends)) else slot)))
-        else:
-            upto = np.zeros(1, np.int64)
+            slot = self.resolve(data, starts, np.concatenate((starts[1:], [len(data)])))
+            upto = np.concatenate((upto, np.cumsum(self.count[slot])))
         out = upto[first[1:]] - upto[first[:-1]]
         for t in self.with_special(data, offsets):
-            pieces, raw = 0, data[offsets[t] : offsets[t + 1]].tobytes()
-            parts = [raw]
+            parts = [data[offsets[t] : offsets[t + 1]].tobytes()]
             for special in self.model.specials:
                 parts = [y for x in parts for y in x.split(special)]
             pieces = len(parts) - 1
             for part in parts:
                 if part:
-                    pieces += int(self.counts(np.frombuffer(part, np.uint8), np.array([0, len(part)]))[0])
+                    pieces += int(self._counts(np.frombuffer(part, np.uint8), np.array([0, len(part)]))[0])
             out[t] = pieces
         return out
 

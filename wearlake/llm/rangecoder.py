@@ -1,131 +1,221 @@
 """Adaptive context-mixing range coder for token ids, many blocks in lockstep.
 
-An id of 16 bits is four 4-bit decisions down a tree.  At each decision the
-counts of 16 outcomes from three models are mixed: order 0 (the tree node),
-order 1 (the id before and the node) and order 2 (both ids before and the
-node); the higher orders are hashed tables of their own.  The weights of orders
-1 and 2 adapt: they rise when the model had seen the outcome in its context
-and fall otherwise.  The mixture drives a carry-less range coder with a
-64-bit state and 16-bit output words.  Only integer arithmetic is used, so any
-machine decodes what another encoded.  Every block starts from fresh models.
-
-numpy handles one position of all blocks at a time; blocks of a call differ in
-length by sorting the longest first.
+A block carries its sorted distinct ids as its alphabet and codes places in it.
+Three models predict each id:
+
+* order 2: the id that last followed the two ids before it (a hashed table),
+* order 1: the id that last followed the id before it,
+* order 0: frequencies of all ids of the alphabet.
+
+Each of the two higher orders counts for how long its prediction has held.
+These two counts and whether both predict the same id choose a set of mixing
+weights: the shares of order 2's id, of order 1's id and of order 0's
+distribution.  Weights and order-0 frequencies are learned from the block's own
+ids and refreshed at the positions ``REFRESH``; the predicted ids learn at every
+position.  The mixture, an interval of ``1 << 2 * BITS`` parts, drives a range
+coder with a 64-bit state and 32-bit output words.  Only integer arithmetic is
+used, so any machine decodes what another encoded.  Every block starts afresh.
+
+The encoder knows all ids, so it finds contexts and predictions of many blocks
+by sorting, and only the coder's state goes position by position; the decoder
+goes through all blocks of a call in lockstep, the longest first.
 """
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 
-_U = np.uint64
-NODES = 1 + 16 + 256 + 4096
-SLOTS = 2048
-STEP, MOST, TOP_WEIGHT = 24, 400, 4  # count increment, count at which a row is halved, largest weight
-_TOP, _BOTTOM = _U(1 << 48), _U(1 << 32)
-_W = _U(16)
-
-
-_TRIANGLE = np.triu(np.ones((16, 16), np.float32))
-
-
-class _Models:
-    def __init__(self, lanes: int):
-        self.lanes = lanes
-        self.zero = np.ones((lanes * NODES, 16), np.uint16)
-        self.high = np.zeros((2 * lanes * SLOTS, 16), np.uint16)
-        self.weight = np.full((2, lanes), 2 * 8, np.uint16)
-        lane = np.arange(lanes, dtype=np.int64)
-        self.row = lane * 16
-        self.base0, self.base1, self.base2 = lane * NODES, lane * SLOTS, (lanes + lane) * SLOTS
-
-    def rows(self, n: int, node: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> None:
-        """Look up the rows of the decision of the first n lanes and mix their counts."""
-        self.n = n
-        self.at0 = self.base0[:n] + node
-        self.at1 = self.base1[:n] + ((c1 + node * 0x9E5) * 0x2C1B3C6D >> 12) % SLOTS
-        self.at2 = self.base2[:n] + ((c2 + node * 0x9E5) * 0x297A2D39 >> 12) % SLOTS
-        w = self.weight[:, :n, None] >> 3
-        self.r0, self.r1, self.r2 = self.zero.take(self.at0, axis=0), self.high.take(self.at1, axis=0), self.high.take(self.at2, axis=0)
-        mixed = self.r1 * w[0]
-        mixed += self.r2 * w[1]
-        mixed += self.r0
-        # running sums by a triangular product; below 2**24, so exact in single precision
-        self.upto = (mixed.astype(np.float32) @ _TRIANGLE).astype(np.uint32)
-
-    def learn(self, symbol: np.ndarray) -> None:
-        flat = self.row[: self.n] + symbol
-        count0, count1, count2 = (r.ravel()[flat] for r in (self.r0, self.r1, self.r2))
-        for w, count in ((self.weight[0, : self.n], count1), (self.weight[1, : self.n], count2)):
-            seen = count > 0
-            w += seen & (w < 8 * TOP_WEIGHT)
-            w -= ~seen & (w > 8)
-        for table, at, count, least in ((self.zero, self.at0, count0, 1), (self.high, self.at1, count1, 0), (self.high, self.at2, count2, 0)):
-            count += STEP
-            table.ravel()[at * 16 + symbol] = count
-            if count.max() > MOST:
-                full = at[count > MOST]
-                table[full] = np.maximum(table[full] >> 1, least)
-
-
-def _context(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the id before and of both ids before, for every position of (lanes, length) ids; 65535 stands before a block."""
-    before = np.full_like(ids, 65535)
-    before[:, 1:] = ids[:, :-1]
-    two = np.full_like(ids, 65535)
-    two[:, 2:] = ids[:, :-2]
-    return before * 0x10001, before * 0x10001 + two * 0x3504F333
-
-
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """Each block of ids (0 to 65534) as bytes."""
+BITS = 12
+TOTAL = 1 << BITS
+#: Most ids of a block: the alphabet must fit in the order-0 total.
+BLOCK_IDS = TOTAL
+SLOTS = 1 << 12
+REFRESH = (16, 48, 96, 160, 256, 384, 576, 896, 1408, 2112, 3008)
+#: Weight of one occurrence against the start weight 1 of every id of the alphabet.
+STEP = 4
+_U, _V = np.uint64, np.uint32
+_LEAST, _WORD = _U(1 << 32), _U(32)
+
+# A context's entry is (1 + the place of the id that last followed) << 5 and the number of times in a row that it did, up
+# to 3: at bit 3 in the table of order 2 and at bit 1 in that of order 1, so that both and a bit for agreement make a state.
+HELD, STATES, _RUNS = 3, 32, 31
+_AGAIN = {at: np.array([*(min((d >> at) + 1, HELD) << at for d in range(32)), 1 << at], np.int32) for at in (1, 3)}
+
+
+def _states() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each state: start weights of the three outcomes, and whether order 2 and order 1 can be an outcome."""
+    state = np.arange(STATES)
+    two, one, agree = state >> 3, state >> 1 & 3, state & 1
+    start = np.stack((np.array([0, 3, 14, 40])[two], np.where(agree, 0, np.array([0, 1, 4, 12])[one]), np.full(STATES, 16)), axis=1)
+    return start, two > 0, (one > 0) & (agree == 0)
+
+
+_START, _CAN_TWO, _CAN_ONE = _states()
+
+
+def _weights(seen: np.ndarray) -> np.ndarray:
+    """Ends of the shares of order 2's and of order 1's id, packed, from the outcomes (lanes, STATES, 3) seen."""
+    weight = seen * 8 + _START
+    total = weight.sum(axis=2)
+    two = np.where(_CAN_TWO, 1 + weight[:, :, 0] * (TOTAL - 16) // total, 0)
+    one = np.where(_CAN_ONE, 1 + weight[:, :, 1] * (TOTAL - 16) // total, 0)
+    return (two | (two + one) << 16).astype(_V)
+
+
+def _cumulative(seen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Cumulative order-0 frequencies (lanes, width + 1) from occurrences (lanes, width); TOTAL from a lane's alphabet on."""
+    lanes, width = seen.shape
+    place = np.arange(width + 1, dtype=np.int32)
+    weight = seen * np.int32(STEP)
+    weight += place[:-1] < sizes[:, None]
+    upto = np.zeros((lanes, width + 1), np.int32)
+    np.cumsum(weight, axis=1, out=upto[:, 1:])
+    # at most (STEP + 1) * BLOCK_IDS * TOTAL, below 2**31
+    return upto * (TOTAL - sizes[:, None]) // np.maximum(upto[:, -1:], 1) + np.minimum(place, sizes[:, None])
+
+
+def _stops(most: int) -> list[int]:
+    return [0, *(p for p in REFRESH if p < most), most]
+
+
+def _entries(context: np.ndarray, symbol: np.ndarray, at: int) -> np.ndarray:
+    """The table entry of each position's context before it, for positions in a row; symbol: 1 + place."""
+    n = len(context)
+    bits = _U(max(n - 1, 1).bit_length())
+    order = np.sort(context.astype(_U) << bits | np.arange(n, dtype=_U))
+    context, order = (order >> bits).astype(_V), (order & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    own = symbol.take(order)
+    known = context[1:] == context[:-1]
+    fresh = np.ones(n, bool)
+    fresh[1:] = ~(known & (own[1:] == own[:-1]))
+    place = np.arange(n, dtype=np.int32)
+    run = np.minimum(place - np.maximum.accumulate(place * fresh), HELD - 1)
+    out = np.zeros(n, np.int32)
+    out[order[1:]] = (own[:-1] << 5 | (run[:-1] + 1) << at) * known
+    return out
+
+
+def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and width of each position's interval; ids: places in the alphabet (lanes, most)."""
+    lanes, most = ids.shape
+    lane = np.arange(lanes, dtype=np.int32)[:, None]
+    symbol = ids + np.int32(1)
+    before, two = np.zeros_like(ids), np.zeros_like(ids)
+    before[:, 1:], two[:, 2:] = symbol[:, :-1], symbol[:, :-2]
+    first = _entries((lane * (TOTAL + 1) + before).ravel(), symbol.ravel(), 1).reshape(lanes, most)
+    second = _entries((lane * SLOTS + ((before * 0x1B5 ^ two * 0x5A4D) & (SLOTS - 1))).ravel(), symbol.ravel(), 3).reshape(lanes, most)
+    state = (first | second) & _RUNS | (first ^ second < 32)
+    hit_two, hit_one = second >> 5 == symbol, first >> 5 == symbol
+    outcome = 2 - 2 * hit_two.view(np.int8) - (hit_one & ~hit_two).view(np.int8)
+    start, width = np.empty((lanes, most), _V), np.empty((lanes, most), _V)
+    seen, count = np.zeros((lanes, STATES, 3), np.int64), np.zeros((lanes, int(sizes.max(initial=1))), np.int32)
+    inside = np.arange(most) < length[:, None]
+    stops = _stops(most)
+    for a, b in zip(stops[:-1], stops[1:]):
+        at = lane * STATES + state[:, a:b]
+        ends = _weights(seen).take(at)
+        end_two, end_one = ends & _V(0xFFFF), ends >> _V(16)
+        upto = _cumulative(count, sizes)
+        out, own = outcome[:, a:b], lane * (upto.shape[1]) + ids[:, a:b]
+        low = upto.take(own).astype(_V)
+        rest = _V(TOTAL) - end_one
+        start[:, a:b] = np.where(out == 2, (end_one << _V(BITS)) + rest * low, (end_two << _V(BITS)) * (out == 1))
+        width[:, a:b] = np.where(out == 2, rest * (upto.take(own + 1).astype(_V) - low), np.where(out == 1, end_one - end_two, end_two) << _V(BITS))
+        if b < most:
+            live = inside[:, a:b]
+            seen += np.bincount((at * 3 + out)[live], minlength=seen.size).reshape(seen.shape)
+            count += np.bincount((own - lane)[live & (out == 2)], minlength=count.size).reshape(count.shape).astype(np.int32)
+    return start, width
+
+
+def pack_alphabet(ids: np.ndarray) -> bytes:
+    """Ascending distinct ids below 1 << 32: their last bits, and the others as unary steps."""
+    n, top = len(ids), int(ids[-1]) if len(ids) else 0
+    cut = max((top // max(n, 1)).bit_length() - 1, 0)
+    high = np.zeros((top >> cut) + n + 1, bool)
+    high[(ids >> cut) + np.arange(n)] = True
+    low = (ids[:, None] >> np.arange(cut) & 1).astype(bool)
+    return struct.pack("<HBI", n, cut, len(high)) + np.packbits(high).tobytes() + np.packbits(low.ravel()).tobytes()
+
+
+def unpack_alphabet(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
+    """The ids, and where their bytes end."""
+    n, cut, long = struct.unpack_from("<HBI", raw, at)
+    middle = at + 7 + -(-long // 8)
+    end = middle + -(-n * cut // 8)
+    if end > len(raw):
+        raise ValueError("damaged alphabet of a block")
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, middle - at - 7, at + 7), count=long))
+    if len(high) != n:
+        raise ValueError("damaged alphabet of a block")
+    low = np.unpackbits(np.frombuffer(raw, np.uint8, end - middle, middle), count=n * cut).reshape(n, cut).astype(np.int64)
+    return (high - np.arange(n)) << cut | low @ (np.int64(1) << np.arange(cut)), end
+
+
+def _alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct ids, and the place of each id among them."""
+    if len(ids) == 0 or int(ids.max()) >= 1 << 17:
+        return np.unique(ids, return_inverse=True)
+    known = np.zeros(int(ids.max()) + 1, bool)
+    known[ids] = True
+    alphabet = np.flatnonzero(known)
+    place = np.empty(len(known), np.int32)
+    place[alphabet] = np.arange(len(alphabet))
+    return alphabet, place.take(ids)
+
+
+def encode(blocks: list[np.ndarray], lanes_at_once: int = 32) -> list[bytes]:
+    """Each block of at most BLOCK_IDS ids (0 to 2**32 - 1) as bytes; ValueError for others."""
+    for own in blocks:
+        if len(own) > BLOCK_IDS or (len(own) and (int(own.min()) < 0 or int(own.max()) >= 1 << 32)):
+            raise ValueError(f"a block holds at most {BLOCK_IDS} ids from 0 to 4294967295")
     lanes = len(blocks)
     order = sorted(range(lanes), key=lambda k: -len(blocks[k]))
     length = np.array([len(blocks[k]) for k in order], np.int64)
     most = int(length.max(initial=0))
-    ids = np.zeros((lanes, most), np.int64)
-    for row, k in enumerate(order):
-        ids[row, : len(blocks[k])] = blocks[k]
-    c1, c2 = _context(ids)
-    models = _Models(lanes)
+    starts, widths = np.empty((most, lanes), _V), np.empty((most, lanes), _V)
+    heads: list[bytes] = []
+    for a in range(0, lanes, lanes_at_once):
+        b = min(a + lanes_at_once, lanes)
+        ids, sizes = np.zeros((b - a, most), np.int32), np.zeros(b - a, np.int32)
+        for row in range(a, b):
+            alphabet, place = _alphabet(blocks[order[row]])
+            ids[row - a, : len(place)], sizes[row - a] = place, len(alphabet)
+            heads.append(pack_alphabet(alphabet))
+        start, width = _intervals(ids, length[a:b], sizes)
+        starts[:, a:b], widths[:, a:b] = start.T, width.T
     low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    out = np.zeros((lanes, most + most // 2 + 64), np.uint16)
-    used = np.zeros(lanes, np.int64)
-    for t in range(most):
-        n = int(np.searchsorted(-length, -t, side="left"))  # lanes longer than t
-        if used[:n].max() + 24 > out.shape[1]:
-            out = np.concatenate((out, np.zeros((lanes, most // 2 + 64), np.uint16)), axis=1)
-        id_, a, b = ids[:n, t], c1[:n, t], c2[:n, t]
-        lane = np.arange(n)
-        node = np.zeros(n, np.int64)
-        for level, first in enumerate((1, 17, 273, 0)):
-            symbol = id_ >> (12 - 4 * level) & 15
-            models.rows(n, node, a, b)
-            upto = models.upto
-            start = np.where(symbol > 0, upto[lane, symbol - 1], 0).astype(_U)
-            unit = span[:n] // upto[:, 15]
-            low[:n] += start * unit
-            span[:n] = (upto[lane, symbol] - start) * unit
-            models.learn(symbol)
-            while True:
-                l, s = low[:n], span[:n]
-                same = (l ^ (l + s)) < _TOP
-                small = s < _BOTTOM
-                go = np.flatnonzero(same | small)
-                if not len(go):
-                    break
-                if small.any():
-                    tight = np.flatnonzero(small & ~same)
-                    span[tight] = (~low[tight] + _U(1)) & (_BOTTOM - _U(1))
-                out[go, used[go]] = low[go] >> _U(48)
-                used[go] += 1
-                low[go] <<= _W
-                span[go] <<= _W
-            if level < 3:
-                node = first + (id_ >> (12 - 4 * level))
-    tail = np.stack([(low >> _U(48 - 16 * k)).astype(np.uint16) for k in range(4)], axis=1) if lanes else np.zeros((0, 4), np.uint16)
+    room = most + 4
+    out = np.zeros((room, lanes), _U)  # carries are added to words and passed on at the end
+    flat, used = out.ravel(), np.arange(lanes, dtype=np.int64) + lanes
+    live, shift = np.searchsorted(-length, -np.arange(most), side="left").tolist(), _U(2 * BITS)
+    for t, n in enumerate(live):
+        part, own = span[:n], low[:n]
+        part >>= shift
+        move = starts[t, :n] * part
+        own += move
+        over = (own < move).nonzero()[0]
+        if len(over):
+            flat[used[over] - lanes] += _U(1)
+        part *= widths[t, :n]
+        go = (part < _LEAST).nonzero()[0]
+        if len(go):
+            at, value = used[go], own[go]
+            flat[at] = value >> _WORD
+            used[go] = at + lanes
+            own[go] = value << _WORD
+            part[go] <<= _WORD
+    for down in (_WORD, _U(0)):
+        flat[used] = low >> down & _U(0xFFFFFFFF)
+        used += lanes
+    for k in range(room - 1, 0, -1):
+        out[k - 1] += out[k] >> _WORD
+    words, used = np.ascontiguousarray(out.astype("<u4").T), used // max(lanes, 1)
     done: list[bytes] = [b""] * lanes
     for row, k in enumerate(order):
-        done[k] = np.concatenate((out[row, : used[row]], tail[row])).astype("<u2").tobytes()
+        done[k] = heads[row] + words[row, 1 : used[row]].tobytes()
     return done
 
 
@@ -135,55 +225,98 @@ def decode(parts: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     order = sorted(range(lanes), key=lambda k: -lengths[k])
     length = np.array([lengths[k] for k in order], np.int64)
     most = int(length.max(initial=0))
-    words = np.zeros((lanes, max((len(p) // 2 for p in parts), default=0) + 8), np.uint64)
-    for row, k in enumerate(order):
-        own = np.frombuffer(parts[k], "<u2")
+    alphabets, coded = [], []
+    for k in order:
+        alphabet, end = unpack_alphabet(parts[k])
+        alphabets.append(alphabet)
+        coded.append(np.frombuffer(parts[k], "<u4", (len(parts[k]) - end) // 4, end))
+    sizes = np.array([len(x) for x in alphabets], np.int32)
+    if most > BLOCK_IDS or (sizes > TOTAL).any() or (sizes < np.minimum(length, 1)).any():
+        raise ValueError("damaged block of ids")
+    width, room = int(sizes.max(initial=1)), max((len(x) for x in coded), default=0) + 2
+    words = np.zeros((lanes, room), _V)
+    for row, own in enumerate(coded):
         words[row, : len(own)] = own
-    models = _Models(lanes)
-    low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    code = np.zeros(lanes, _U)
-    for k in range(4):
-        code = code << _W | words[:, k]
-    read = np.full(lanes, 4, np.int64)
-    ids = np.zeros((lanes, most), np.int64)
-    before, two = np.full(lanes, 65535, np.int64), np.full(lanes, 65535, np.int64)
-    for t in range(most):
-        n = int(np.searchsorted(-length, -t, side="left"))
-        a = before[:n] * 0x10001
-        b = a + two[:n] * 0x3504F333
-        lane = np.arange(n)
-        node, value = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for level, first in enumerate((1, 17, 273, 0)):
-            models.rows(n, node, a, b)
-            upto = models.upto
-            unit = span[:n] // upto[:, 15]
-            point = (code[:n] - low[:n]) // unit
-            symbol = np.argmax(upto > np.minimum(point, upto[:, 15] - np.uint32(1))[:, None], axis=1)
-            start = np.where(symbol > 0, upto[lane, symbol - 1], 0).astype(_U)
-            low[:n] += start * unit
-            span[:n] = (upto[lane, symbol] - start) * unit
-            models.learn(symbol)
-            while True:
-                l, s = low[:n], span[:n]
-                same = (l ^ (l + s)) < _TOP
-                small = s < _BOTTOM
-                go = np.flatnonzero(same | small)
-                if not len(go):
-                    break
-                if small.any():
-                    tight = np.flatnonzero(small & ~same)
-                    span[tight] = (~low[tight] + _U(1)) & (_BOTTOM - _U(1))
-                code[go] = code[go] << _W | words[go, np.minimum(read[go], words.shape[1] - 1)]
-                read[go] += 1
-                low[go] <<= _W
-                span[go] <<= _W
-            value = value << 4 | symbol
-            if level < 3:
-                node = first + value
-        ids[:n, t] = value
-        two[:n] = before[:n]
-        before[:n] = value
-    done: list[np.ndarray] = [ids[:0, 0]] * lanes if most else [np.zeros(0, np.int64)] * lanes
+    words = words.ravel()
+    lane = np.arange(lanes, dtype=np.int64)
+    read = lane * room + 2
+    code, span = words[read - 2].astype(_U) << _WORD | words[read - 1], np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
+    one, two = np.zeros(lanes * (width + 1), np.int32), np.zeros(lanes * SLOTS, np.int32)
+    base_one, base_two, base_state, base_table, base_place = lane * (width + 1), lane * SLOTS, lane * STATES, lane * TOTAL, lane * width
+    seen, count = np.zeros((lanes, STATES, 3), np.int64), np.zeros((lanes, width), np.int32)
+    ids, noted = np.zeros((most, lanes), np.int16), np.zeros((most, lanes), np.int8)
+    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    live = np.searchsorted(-length, -np.arange(most), side="left").tolist()
+    last_word, stops, most_point = len(words) - 1, _stops(most), _U((1 << 2 * BITS) - 1)
+    twelve, sixteen, low_half, total = _V(BITS), _V(16), _V(0xFFFF), _V(TOTAL)
+    for a, b in zip(stops[:-1], stops[1:]):
+        ends_table = _weights(seen).ravel()
+        upto = _cumulative(count, sizes)
+        frequency = (upto[:, :-1] << 16 | np.diff(upto, axis=1)).astype(_V).ravel()
+        mark = np.zeros(lanes * TOTAL + 1, np.int16)
+        mark[(upto[:, :-1] + base_table[:, None])[np.arange(width) < sizes[:, None]]] = 1
+        mark[:-1:TOTAL] = 0
+        table = np.cumsum(mark[:-1].reshape(lanes, TOTAL), axis=1, dtype=np.int16).ravel()  # the place of each part
+        for t in range(a, b):
+            n = live[t]
+            prev, far = before[:n], last[:n]
+            at_one = base_one[:n] + prev
+            far ^= prev * 0x1B5
+            far &= SLOTS - 1
+            at_two = base_two[:n] + far
+            first, second = one.take(at_one), two.take(at_two)
+            state = (first | second) & _RUNS
+            state |= (first ^ second) < 32
+            ends = ends_table.take(base_state[:n] + state)
+            end_one = ends >> sixteen
+            part = span[:n] >> _U(2 * BITS)
+            point = np.minimum(code[:n] // part, most_point).astype(_V)
+            offset, rest = end_one << twelve, total - end_one
+            # as if order 0 gave all ids; the few that a higher order gave are put right below
+            hit = (point < offset).nonzero()[0]
+            own = point - offset
+            own[hit] = 0
+            own //= rest
+            symbol = table.take(base_table[:n] + own)
+            own = frequency.take(base_place[:n] + symbol)
+            start = own >> sixteen
+            start *= rest
+            start += offset
+            own &= low_half
+            own *= rest
+            if len(hit):
+                end_two = ends[hit] & low_half
+                by_two = point[hit] >> twelve < end_two
+                symbol[hit] = (np.where(by_two, second[hit], first[hit]) >> 5) - 1
+                start[hit] = (end_two << twelve) * ~by_two
+                own[hit] = np.where(by_two, end_two, end_one[hit] - end_two) << twelve
+                state[hit] -= np.where(by_two, 128, 64)  # outcomes in the two highest bits: -2 order 2, -1 order 1
+            code[:n] -= start * part
+            np.multiply(own, part, out=span[:n])
+            go = (span[:n] < _LEAST).nonzero()[0]
+            if len(go):
+                where = read[go]
+                code[go] = code[go] << _WORD | words.take(np.minimum(where, last_word))
+                read[go] = where + 1
+                span[go] <<= _WORD
+            ids[t, :n] = symbol
+            noted[t, :n] = state
+            symbol = symbol.astype(np.int32) + 1
+            entry = symbol << 5
+            first ^= entry
+            second ^= entry
+            one[at_one] = entry | _AGAIN[1].take(np.minimum(first.view(_V), _V(32)))
+            two[at_two] = entry | _AGAIN[3].take(np.minimum(second.view(_V), _V(32)))
+            np.multiply(prev, 0x5A4D, out=far)
+            before[:n] = symbol
+        if b < most:
+            inside = np.arange(a, b)[:, None] < length
+            own = noted[a:b].astype(np.int64)
+            outcome = (own >> 6) + 2
+            seen += np.bincount(((base_state + (own & _RUNS)) * 3 + outcome)[inside], minlength=seen.size).reshape(seen.shape)
+            count += np.bincount((base_place + ids[a:b])[inside & (outcome == 2)], minlength=count.size).reshape(count.shape).astype(np.int32)
+    done: list[np.ndarray] = [np.zeros(0, np.int64)] * lanes
+    ids = np.ascontiguousarray(ids.T)
     for row, k in enumerate(order):
-        done[k] = ids[row, : length[row]]
+        done[k] = alphabets[row][np.minimum(ids[row, : length[row]], max(int(sizes[row]) - 1, 0))]
     return done

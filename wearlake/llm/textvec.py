@@ -5,9 +5,10 @@ Python object is made per word.  A word is a maximal run of bytes other than
 space and ``\\t \\n \\v \\f \\r`` (pattern ``[^\\x20\\x09-\\x0D]+``); letters
 A-Z may be folded to a-z.  Nulls count as empty texts.
 
-Hashes are 64-bit.  A word's hash is a polynomial of its bytes modulo 2**64,
-finished by an avalanche mix; an n-word shingle's hash is a mixed linear
-combination of its words' hashes.
+Hashes are 64-bit.  A span's hash sums avalanche mixes of its 8-byte words, each
+mixed with its place, and mixes the sum with the length, so that no structure of
+a text (unlike in a polynomial modulo 2**64) makes hashes equal; an n-word
+shingle's hash is a mixed linear combination of its words' hashes.
 """
 
 from __future__ import annotations
@@ -19,32 +20,14 @@ import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15 | 1)
-_BASE_INV = _U(pow(int(_BASE), -1, 1 << 64))
 _SHINGLE_WEIGHTS = np.array(
     [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3,
      0x1D8E4E27C47D124F, 0xEB44ACCAB455D165, 0x9C6E6877736C46E3],
     dtype=_U,
 )
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, 0 to n at least."""
-    if len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        for k, base in enumerate((_BASE, _BASE_INV)):
-            table = np.full(size, base, _U)
-            table[0] = 1
-            np.multiply.accumulate(table, out=table)
-            _powers[k] = table
-    return _powers[0], _powers[1]
-
 
 def trim() -> None:
     """Give freed memory back to the system; called when a task's input ends, since workers live on."""
-    if len(_powers[0]) > 1 << 21:  # grown for one very long text
-        _powers[:] = [np.ones(1, _U), np.ones(1, _U)]
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -111,13 +94,36 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets, side="left")
 
 
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], _U)  # the first k bytes of a word
+
+
+def span_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of each span as 8-byte little-endian words, the last one filled with zeros, and the index of each span's first (n + 1 values)."""
+    size = ends - starts
+    number = (size + 7) >> 3
+    begin = np.concatenate((np.zeros(1, np.int64), np.cumsum(number)))
+    padded = np.empty(len(data) + 8, np.uint8)
+    padded[:-8], padded[-8:] = data, 0
+    anywhere = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    if begin[-1] == len(size) and len(size) and number.min() == 1:  # one word each
+        return anywhere[starts] & _KEPT[size], begin
+    words = anywhere[np.repeat(starts - 8 * begin[:-1], number) + 8 * np.arange(begin[-1])]
+    last = number > 0
+    words[begin[1:][last] - 1] &= _KEPT[(size[last] - 1 & 7) + 1]
+    return words, begin
+
+
+def hash_words(words: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of spans from their words (``span_words``) and sizes in bytes."""
+    place = np.arange(len(words)) - np.repeat(begin[:-1], np.diff(begin))
+    mixed = mix64(mix64(words) + place.astype(_U) * _U(0x9E3779B97F4A7C15))
+    sums = np.concatenate((np.zeros(1, _U), np.cumsum(mixed)))
+    return mix64((sums[begin[1:]] - sums[begin[:-1]]) ^ (size.astype(_U) * _U(0xA0761D6478BD642F)))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each byte span."""
-    up, down = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum((data.astype(_U) + _U(1)) * up[: len(data)], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * down[starts]
-    return mix64(value ^ ((ends - starts).astype(_U) * _U(0xA0761D6478BD642F)))
+    return hash_words(*span_words(data, starts, ends), ends - starts)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

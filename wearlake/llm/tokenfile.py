@@ -8,11 +8,12 @@ consecutive documents:
     first_id      ids in the part before this chunk
     n_ids         ids in the chunk
     payload       binary, little-endian:
-        "WLRC" 1, n_docs u32, n_blocks u32, crc32 u32 of the index
+        "WLRC" 2, n_docs u32, n_blocks u32, crc32 u32 of the index
         index: null flag u8, doc_id i64, n_tokens i64 columns, deflated, its size u32 first
         blocks: n_ids u32, n_bytes u32, crc32 of the ids u32, then the coded bytes
+            (the block's alphabet and its ids, see ``rangecoder``)
 
-Every block is decoded by itself from fresh models (``rangecoder``).
+Every block is decoded by itself from fresh models.
 """
 
 from __future__ import annotations
@@ -31,16 +32,18 @@ from wearlake.llm import rangecoder
 from wearlake.llm import textvec as tv
 from wearlake.llm.runtime import shared_dir
 
-BLOCK_IDS, CHUNK_BLOCKS = 2048, 768
+BLOCK_IDS, CHUNK_BLOCKS = rangecoder.BLOCK_IDS, 1536
+#: Bytes of text for each part: about one chunk of ids.
+PART_BYTES = 12 << 20
 _HEAD, _BLOCK = struct.Struct("<4sBIII"), struct.Struct("<III")
 
 
 def pack_chunk(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
-    """The payload of documents whose ids lie in a row.  Ids up to 65534."""
+    """The payload of documents whose token ids lie in a row; ValueError for token ids beyond 0 to 2**32 - 1."""
     null = np.array([x is None for x in doc_ids], np.uint8)
     index = zlib.compress(null.tobytes() + np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.asarray(lengths, "<i8").tobytes())
-    blocks = [ids[k : k + block_ids].astype(np.int64) for k in range(0, len(ids), block_ids)]
-    out = [_HEAD.pack(b"WLRC", 1, len(doc_ids), len(blocks), zlib.crc32(index)), struct.pack("<I", len(index)), index]
+    blocks = [ids[k : k + block_ids] for k in range(0, len(ids), block_ids)]
+    out = [_HEAD.pack(b"WLRC", 2, len(doc_ids), len(blocks), zlib.crc32(index)), struct.pack("<I", len(index)), index]
     for own, coded in zip(blocks, rangecoder.encode(blocks)):
         out += [_BLOCK.pack(len(own), len(coded), zlib.crc32(own.astype("<u4").tobytes())), coded]
     return b"".join(out)
@@ -48,8 +51,10 @@ def pack_chunk(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, block_ids: i
 
 def unpack_chunk(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     """(doc ids, lengths, ids) of a payload; ValueError if a checksum or the format is wrong."""
+    if len(payload) < _HEAD.size + 4:
+        raise ValueError("a token chunk ends too early")
     magic, version, n_docs, n_blocks, crc = _HEAD.unpack_from(payload)
-    if magic != b"WLRC" or version != 1:
+    if magic != b"WLRC" or version != 2:
         raise ValueError("not a token chunk")
     (size,) = struct.unpack_from("<I", payload, _HEAD.size)
     at = _HEAD.size + 4
@@ -63,6 +68,8 @@ def unpack_chunk(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     at += size
     heads, coded = [], []
     for _ in range(n_blocks):
+        if at + _BLOCK.size > len(payload):
+            raise ValueError("a token chunk ends too early")
         heads.append(_BLOCK.unpack_from(payload, at))
         at += _BLOCK.size
         coded.append(payload[at : at + heads[-1][1]])
@@ -75,11 +82,14 @@ def unpack_chunk(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 
 
 def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", chunk_ids: int = BLOCK_IDS * CHUNK_BLOCKS) -> None:
-    """Encode every whole text, append ``end_id``, and write ids in ascending order of (doc_id, text), nulls first.
+    """Encode every whole text, append ``end_id``, and write ids in ascending order of (doc_id, hash of the text, text), nulls first.
 
     A null text counts as empty (the end id alone); repeated rows are written
     row by row; a long document stays in one chunk; an empty table writes no
     chunk.  Ids must be long integers.
+
+    Parts are ranges of (id, hash of the text), so rows of one id need not be
+    one part; each holds about PART_BYTES of text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +121,9 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sorted_rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    place = ("id", F.xxhash64("text"), "text")
+    sorted_rows = rows.repartitionByRange(max(1, -(-size // PART_BYTES)), *place[:2]).sortWithinPartitions(*place)
     sorted_rows.mapInArrow(run, "part long, chunk long, first_id long, n_ids long, payload binary").write.parquet(path)
 
 
