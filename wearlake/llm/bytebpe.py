@@ -45,62 +45,65 @@ def _classes() -> np.ndarray:
     return out
 
 
-def _codepoints(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the characters of valid UTF-8, and their classes."""
+def _kinds(data: np.ndarray, at: np.ndarray | None) -> np.ndarray:
+    """Classes of the characters of valid UTF-8 that begin at ``at`` (None: at every byte)."""
     table = _classes()
-    if not (data >= 128).any():
-        return np.arange(len(data)), table[:128][data]
-    at = np.flatnonzero((data & 0xC0) != 0x80)
-    lead = data[at].astype(np.int32)
-    code = lead.copy()
-    padded = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.int32) & 0x3F
-    for low, high, mask, more in ((0xC0, 0xE0, 0x1F, 1), (0xE0, 0xF0, 0x0F, 2), (0xF0, 0xF8, 0x07, 3)):
-        k = np.flatnonzero((lead >= low) & (lead < high))
-        if len(k):
-            value = lead[k] & mask
-            for j in range(1, more + 1):
-                value = value << 6 | padded[at[k] + j]
-            code[k] = value
-    return at, table[code]
+    if at is None:
+        return table[:128].take(data)
+    lead = data.take(at)
+    kind = table[:256].take(lead)
+    wide = np.flatnonzero(lead >= 0xC0)
+    place, first = at[wide], lead[wide].astype(np.int32)
+    length = 2 + (first >= 0xE0) + (first >= 0xF0)
+    code = first & (0x7F >> length)
+    for j in range(1, 4):
+        more = np.flatnonzero(length > j)
+        code[more] = code[more] << 6 | data[place[more] + j] & 0x3F
+    kind[wide] = table[code]
+    return kind
 
 
 def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of all pieces (texts cut at ``offsets``), and for each text the index of its first piece (n + 1 values)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    at, kind = _codepoints(data)
-    n = len(at)
-    byte = data[at]
-    first = np.zeros(n, bool)  # the first character of a text
-    edges = np.searchsorted(at, offsets[:-1][np.diff(offsets) > 0])
-    first[edges] = True
-    last = np.ones(n, bool)
-    last[:-1] = first[1:]
-    previous = np.concatenate(([255], kind[:-1]))
-    following = np.concatenate((kind[1:], [255]))
-    run = first | (kind != previous)  # a run of one class begins
+    at = np.flatnonzero((data & 0xC0) != 0x80) if int(data.max()) >= 128 else None
+    byte, kind = data if at is None else data.take(at), _kinds(data, at)
+    n = len(byte)
+    edges = offsets[:-1][np.diff(offsets) > 0]  # first characters of texts
+    edges = edges if at is None else np.searchsorted(at, edges)
+    start = np.empty(n, bool)  # a run of one class begins
+    start[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start[edges] = True
     # white space: the last character of a run before other text stands alone, or leads the next piece if it is a blank
-    ends = (kind == SPACE) & ~last & (following != SPACE)
-    leads = ends & (byte == 32)
-    start = run.copy()
-    start |= ends
-    after = np.zeros(n, bool)
-    after[1:] = leads[:-1]
-    start[after] = False
+    space = kind == SPACE
+    ends = space.copy()
+    ends[:-1] &= ~space[1:]
+    ends[edges[1:] - 1] = False
+    ends[-1] = False
+    ends = np.flatnonzero(ends)
+    start[ends] = True
+    led = ends[byte.take(ends) == 32] + 1
+    start[led] = False
     # contractions: an apostrophe that begins a piece
-    quote = np.flatnonzero((byte == 39) & start & ~last & ~after)
+    quote = np.flatnonzero(byte == 39)
+    quote = quote[start[quote] & (quote < n - 1)] if len(quote) else quote
     if len(quote):
+        first = np.ones(n + 3, bool)
+        first[:n] = False
+        first[edges] = True
         pad = np.concatenate((byte, np.zeros(3, np.uint8)))
-        stop = np.concatenate((first, np.ones(3, bool)))
         b1, b2 = pad[quote + 1], pad[quote + 2]
-        one = np.isin(b1, np.frombuffer(b"stmd", np.uint8)) & ~stop[quote + 1]
-        two = ~stop[quote + 1] & ~stop[quote + 2] & (((b1 == 114) & (b2 == 101)) | ((b1 == 118) & (b2 == 101)) | ((b1 == 108) & (b2 == 108)))
+        one = np.isin(b1, np.frombuffer(b"stmd", np.uint8)) & ~first[quote + 1]
+        two = ~first[quote + 1] & ~first[quote + 2] & (((b1 == 114) & (b2 == 101)) | ((b1 == 118) & (b2 == 101)) | ((b1 == 108) & (b2 == 108)))
         for k, width in ((quote[one], 2), (quote[two & ~one], 3)):
             start[k + 1] = False
             inside = k + width
             inside = inside[inside < n]
             start[inside] |= kind[inside] == LETTER
-    starts = at[start]
+    starts = np.flatnonzero(start)
+    starts = starts if at is None else at.take(starts)
     return starts, np.searchsorted(starts, offsets, side="left")
 
 

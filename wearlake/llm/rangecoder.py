@@ -32,7 +32,7 @@ TOTAL = 1 << BITS
 #: Most ids of a block: the alphabet must fit in the order-0 total.
 BLOCK_IDS = TOTAL
 SLOTS = 1 << 12
-REFRESH = (16, 48, 96, 160, 256, 384, 576, 896, 1408, 2112, 3008)
+REFRESH = (16, 56, 128, 256, 480, 896, 1664, 2752)
 #: Weight of one occurrence against the start weight 1 of every id of the alphabet.
 STEP = 4
 _U, _V = np.uint64, np.uint32
@@ -83,9 +83,10 @@ def _stops(most: int) -> list[int]:
 def _entries(context: np.ndarray, symbol: np.ndarray, at: int) -> np.ndarray:
     """The table entry of each position's context before it, for positions in a row; symbol: 1 + place."""
     n = len(context)
-    bits = _U(max(n - 1, 1).bit_length())
-    order = np.sort(context.astype(_U) << bits | np.arange(n, dtype=_U))
-    context, order = (order >> bits).astype(_V), (order & ((_U(1) << bits) - _U(1))).astype(np.int64)
+    bits = max(n - 1, 1).bit_length()
+    kind = _V if (int(context.max(initial=0)) + 1) << bits <= 1 << 32 else _U
+    order = np.sort(context.astype(kind) << kind(bits) | np.arange(n, dtype=kind))
+    context, order = order >> kind(bits), (order & kind((1 << bits) - 1)).astype(np.int64)
     own = symbol.take(order)
     known = context[1:] == context[:-1]
     fresh = np.ones(n, bool)
@@ -104,7 +105,7 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
     symbol = ids + np.int32(1)
     before, two = np.zeros_like(ids), np.zeros_like(ids)
     before[:, 1:], two[:, 2:] = symbol[:, :-1], symbol[:, :-2]
-    first = _entries((lane * (TOTAL + 1) + before).ravel(), symbol.ravel(), 1).reshape(lanes, most)
+    first = _entries((lane * (int(sizes.max(initial=0)) + 1) + before).ravel(), symbol.ravel(), 1).reshape(lanes, most)
     second = _entries((lane * SLOTS + ((before * 0x1B5 ^ two * 0x5A4D) & (SLOTS - 1))).ravel(), symbol.ravel(), 3).reshape(lanes, most)
     state = (first | second) & _RUNS | (first ^ second < 32)
     hit_two, hit_one = second >> 5 == symbol, first >> 5 == symbol
@@ -121,8 +122,12 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
         out, own = outcome[:, a:b], lane * (upto.shape[1]) + ids[:, a:b]
         low = upto.take(own).astype(_V)
         rest = _V(TOTAL) - end_one
-        start[:, a:b] = np.where(out == 2, (end_one << _V(BITS)) + rest * low, (end_two << _V(BITS)) * (out == 1))
-        width[:, a:b] = np.where(out == 2, rest * (upto.take(own + 1).astype(_V) - low), np.where(out == 1, end_one - end_two, end_two) << _V(BITS))
+        begin, size = (end_one << _V(BITS)) + rest * low, rest * (upto.take(own + 1).astype(_V) - low)
+        hit = out < 2
+        by_one = out[hit] == 1
+        begin[hit] = (end_two[hit] << _V(BITS)) * by_one
+        size[hit] = np.where(by_one, end_one[hit] - end_two[hit], end_two[hit]) << _V(BITS)
+        start[:, a:b], width[:, a:b] = begin, size
         if b < most:
             live = inside[:, a:b]
             seen += np.bincount((at * 3 + out)[live], minlength=seen.size).reshape(seen.shape)
@@ -156,12 +161,11 @@ def unpack_alphabet(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
 
 def _alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending distinct ids, and the place of each id among them."""
-    if len(ids) == 0 or int(ids.max()) >= 1 << 17:
+    if len(ids) == 0 or int(ids.max()) >= 1 << 16:
         return np.unique(ids, return_inverse=True)
-    known = np.zeros(int(ids.max()) + 1, bool)
-    known[ids] = True
-    alphabet = np.flatnonzero(known)
-    place = np.empty(len(known), np.int32)
+    order = np.sort(ids.astype(np.uint16), kind="stable")  # numpy sorts 16 bits by radix
+    alphabet = order[np.concatenate(([True], order[1:] != order[:-1]))].astype(np.int64)
+    place = np.empty(int(alphabet[-1]) + 1, np.int32)
     place[alphabet] = np.arange(len(alphabet))
     return alphabet, place.take(ids)
 
@@ -187,7 +191,7 @@ def encode(blocks: list[np.ndarray], lanes_at_once: int = 32) -> list[bytes]:
         start, width = _intervals(ids, length[a:b], sizes)
         starts[:, a:b], widths[:, a:b] = start.T, width.T
     low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    room = most + 4
+    room = most * 2 * BITS // 32 + 6  # a position takes 2 * BITS bits at most
     out = np.zeros((room, lanes), _U)  # carries are added to words and passed on at the end
     flat, used = out.ravel(), np.arange(lanes, dtype=np.int64) + lanes
     live, shift = np.searchsorted(-length, -np.arange(most), side="left").tolist(), _U(2 * BITS)
@@ -210,7 +214,7 @@ def encode(blocks: list[np.ndarray], lanes_at_once: int = 32) -> list[bytes]:
     for down in (_WORD, _U(0)):
         flat[used] = low >> down & _U(0xFFFFFFFF)
         used += lanes
-    for k in range(room - 1, 0, -1):
+    for k in range(int(used.max(initial=0)) // max(lanes, 1), 0, -1):
         out[k - 1] += out[k] >> _WORD
     words, used = np.ascontiguousarray(out.astype("<u4").T), used // max(lanes, 1)
     done: list[bytes] = [b""] * lanes

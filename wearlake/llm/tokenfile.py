@@ -32,9 +32,9 @@ from wearlake.llm import rangecoder
 from wearlake.llm import textvec as tv
 from wearlake.llm.runtime import shared_dir
 
-BLOCK_IDS, CHUNK_BLOCKS = rangecoder.BLOCK_IDS, 1536
+BLOCK_IDS, CHUNK_BLOCKS = rangecoder.BLOCK_IDS, 2048
 #: Bytes of text for each part: about one chunk of ids.
-PART_BYTES = 12 << 20
+PART_BYTES = 16 << 20
 _HEAD, _BLOCK = struct.Struct("<4sBIII"), struct.Struct("<III")
 
 
