@@ -1,7 +1,7 @@
 import pytest
 
 from tests.compare import duck, rows
-from wearlake import queries as core
+from wearlake import registry as core
 
 SF = "/root/testdata/sf0.001"
 

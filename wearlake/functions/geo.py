@@ -3,14 +3,16 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wearlake.functions import formats
+
 EARTH_M = 6_371_000.0
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle metres; the half-chord is clamped to [0, 1]."""
+    """Great-circle metres, null if a coordinate is; the half-chord is clamped to [0, 1]."""
     half = lambda a, b: F.pow(F.sin(F.radians(b - a) / 2), 2)
     a = half(lat1, lat2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half(lon1, lon2)
-    return F.lit(2 * EARTH_M) * F.asin(F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), a))))
+    return F.lit(2 * EARTH_M) * F.asin(F.sqrt(F.when(a < 0, 0.0).when(a > 1, 1.0).otherwise(a)))  # greatest and least would pass over nulls
 
 
 def bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -21,6 +23,28 @@ def bearing(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return (F.degrees(F.atan2(y, x)) + 360.0) % 360.0
 
 
+def cyclic(heading: Column) -> tuple[Column, Column]:
+    """Sine and cosine of degrees."""
+    return F.sin(F.radians(heading)), F.cos(F.radians(heading))
+
+
+def speed_share(kmh: Column, fastest: float = 120.0) -> Column:
+    """Part of the fastest speed, in [0, 1]; null of null."""
+    return F.when(kmh < 0, 0.0).when(kmh > fastest, 1.0).otherwise(kmh / fastest)
+
+
+def tile_name(lat: Column, lon: Column) -> Column:
+    """``tile_<lat>_<lon>`` with 3 decimals of the exact binary values."""
+    return F.concat(F.lit("tile_"), formats.fixed(lat, 3), F.lit("_"), formats.fixed(lon, 3))
+
+
+def place_name(lookup: Column, lat: Column, lon: Column) -> Column:
+    """Of a struct found for a place, the neighbourhood, else suburb, city_district, city, else the first 60 characters of
+    display_name; without any, the tile."""
+    named = [F.nullif(lookup[c], F.lit("")) for c in ("neighbourhood", "suburb", "city_district", "city")]
+    return F.coalesce(*named, F.nullif(F.substring(lookup["display_name"], 1, 60), F.lit("")), tile_name(lat, lon))
+
+
 def wkt_point(lat: Column, lon: Column) -> Column:
     return F.concat(F.lit("POINT("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))
 

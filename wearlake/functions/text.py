@@ -85,6 +85,13 @@ def scenario(word: Column, speed_kmh: Column, default: str) -> Column:
     return F.coalesce(word, F.when(speed_kmh > 15, "driving").when(speed_kmh > 3, "food_delivery").otherwise(default))
 
 
+def motion_level(magnitude: Column, frames: Column) -> tuple[Column, Column]:
+    """(level, confidence) of a mean flow magnitude; under two frames low with 0.4, without a magnitude low with 0.3."""
+    few = frames <= 1
+    level = F.when(few | magnitude.isNull(), "low").when(magnitude > 8, "high").when(magnitude > 2, "medium").otherwise("low")
+    return level, F.when(few, 0.4).when(magnitude.isNull(), 0.3).when(magnitude > 8, 0.8).when(magnitude > 2, 0.7).otherwise(0.6)
+
+
 def hint(text: Column, action_type: Column) -> Column:
     out = text
     for a, b in HINTS:

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wearlake.functions import formats
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -15,5 +17,5 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def literal(v: Column) -> Column:
-    """``[x,...]`` with 8 decimals."""
-    return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string("%.8f", x.cast("double"))), ","), F.lit("]"))
+    """``[x,...]`` with 8 decimals; components below 90 million."""
+    return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: formats.fixed(x, 8)), ","), F.lit("]"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearlake.operators import series
+
 
 def missing_runs(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """(after_chunk, missing) of every hole in the chunk numbers."""
@@ -21,17 +23,58 @@ def time_gaps(chunks: DataFrame, most: float = 5.0, length: float = 30.0, part:
 
 
 def coverage(chunks: DataFrame, length: float = 30.0, fps: float = 30.0, part: str = "session", i: str = "chunk") -> DataFrame:
-    """Found and missing chunks between the first and last, percent, frames and seconds (from the times, else by number)."""
+    """Found and missing chunks between the first and last, percent, frames and seconds (from the times,
+    else by number), and the holes."""
     n, span = F.countDistinct(i), F.max(i) - F.min(i) + 1
     seconds = F.coalesce(F.max("end_time") - F.min("start_time"), n * F.lit(length))
     out = chunks.groupBy(part).agg(n.alias("found"), (span - n).alias("missing"), F.round(100 * n / span, 2).alias("percent"), seconds.alias("seconds"))
-    return out.withColumn("frames", F.floor(F.col("seconds") * fps))
+    holes = missing_runs(chunks, part, i).groupBy(part).agg(F.array_sort(F.collect_list(F.struct("after_chunk", "missing"))).alias("gaps"))
+    empty = F.array().cast(holes.schema["gaps"].dataType)
+    return out.withColumn("frames", F.floor(F.col("seconds") * fps)).join(holes, part, "left").withColumn("gaps", F.coalesce("gaps", empty))
 
 
 def absent_chunks(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """Chunk numbers expected between first and last but not there."""
     ends = chunks.groupBy(part).agg(F.min(i).alias("a"), F.max(i).alias("b"))
-    return ends.select(part, F.explode(F.sequence("a", "b")).alias(i)).join(chunks.select(part, i), [part, i], "left_anti")
+    return ends.select(part, F.explode(series.numbers(F.col("a"), F.col("b"))).alias(i)).join(chunks.select(part, i), [part, i], "left_anti")
+
+
+def common_chunks(left: DataFrame, right: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
+    """Chunks that both have, once each."""
+    return left.select(part, i).intersect(right.select(part, i))
+
+
+def path_list(parts: list[DataFrame]) -> DataFrame:
+    """Paths of several listings, each in its own order and one listing after the other."""
+    out = parts[0].select("path", F.lit(0).alias("listing"))
+    for k, p in enumerate(parts[1:], 1):
+        out = out.unionAll(p.select("path", F.lit(k).alias("listing")))
+    return out.orderBy("listing", "path")
+
+
+def video_manifest(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
+    """(part, order, path) of the video files to join, in chunk order."""
+    return chunks.select(part, (F.row_number().over(Window.partitionBy(part).orderBy(i)) - 1).alias("order"), F.col("video").alias("path"))
+
+
+def series_of_chunks(rows: DataFrame, part: str = "session", t: str = "timestamp", order: tuple[str, ...] = ("chunk", "row")) -> DataFrame:
+    """The rows of all chunks of a session, of one time only the first by chunk and row."""
+    return series.first_by_time(rows, [part, t], list(order))
+
+
+def assemble(chunks: DataFrame, length: float = 30.0, part: str = "session", i: str = "chunk") -> DataFrame:
+    """One row per session of chunks (chunk, session_id, start_time, end_time): name, number and list of chunks, seconds
+    (from the earliest start to the latest end, else ``length`` a chunk), holes in the numbers and in time.
+
+    Sessions without chunks have no row.
+    """
+    named = session_name(chunks.withColumn("_folder", F.col(part).cast("string")), "_folder", part, i)
+    seconds = F.coalesce(F.max("end_time") - F.min("start_time"), F.countDistinct(i) * F.lit(length))
+    whole = chunks.groupBy(part).agg(F.countDistinct(i).alias("chunk_count"), F.array_sort(F.collect_set(i)).alias("chunk_indices"), seconds.alias("seconds"))
+    holes = missing_runs(chunks.select(part, i).distinct(), part, i).groupBy(part).agg(F.sum("missing").alias("missing"))
+    late = time_gaps(chunks, length=length, part=part, i=i).groupBy(part).agg(F.count("*").alias("late"))
+    joined = whole.join(named, part).join(holes, part, "left").join(late, part, "left")
+    return joined.withColumns({"missing": F.coalesce("missing", F.lit(0)), "late": F.coalesce("late", F.lit(0))})
 
 
 def concat_frames(parts: list[DataFrame]) -> DataFrame:

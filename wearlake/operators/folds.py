@@ -1,8 +1,9 @@
-"""Inherently sequential operators: one ordered fold per series, as Arrow-batched group functions."""
+"""Inherently sequential operators: ordered folds over series, as Arrow-batched functions."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -10,32 +11,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def kalman(df: DataFrame, columns: list[str], part: str = "session", t: str = "t", start: float = 1e-4, drift: float = 1e-4, noise: float = 1e-2) -> DataFrame:
-    """Constant-velocity smoothing; the axes share one 2x2 covariance.  A step of no time counts as 1 s; one row stays."""
-    names = [f"{c}_smooth" for c in columns]
-
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(t, kind="stable").reset_index(drop=True)
-        z, times = p[columns].to_numpy(float), p[t].to_numpy(float)
-        out, v = z.copy(), np.zeros(len(columns))
-        a = b = 0.0
-        p00, p01, p11 = start, 0.0, start
-        for k in range(1, len(z)):
-            dt = times[k] - times[k - 1]
-            dt = dt if dt > 0 else 1.0
-            a = p00 + 2 * dt * p01 + dt * dt * p11 + drift * dt**4 / 4
-            b = p01 + dt * p11 + drift * dt**3 / 2
-            c = p11 + drift * dt * dt
-            g, h = a / (a + noise), b / (a + noise)
-            ahead = out[k - 1] + dt * v
-            e = z[k] - ahead
-            out[k], v = ahead + g * e, v + h * e
-            p00, p01, p11 = (1 - g) * a, (1 - g) * b, c - h * b
-        p[names] = out
-        return p
+Step = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def carried(df: DataFrame, columns: list[str], names: list[str], width: int, step: Step, part: str, t: str, tie: str | None = None) -> DataFrame:
+    """Adds ``names``, a fold over each series in time order.
+
+    ``step(state, values, fresh)`` gets (n, width) states, (n, 1 + columns) times and values of one row of each of n
+    series and which rows are their series' first; it returns states and (n, names) results.  Rows are sorted in
+    partitions and worked through a batch at a time, the series of a batch in lockstep; the last one's state is carried
+    to the next batch, so that a series of any length needs no more memory.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, held = None, np.zeros(width)
+        for p in parts:
+            if not len(p):
+                continue
+            keys = p[part].astype(object).where(p[part].notna(), None).to_numpy()
+            values = p[[t, *columns]].to_numpy(float)
+            start = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+            size = np.diff(np.append(start, len(p)))
+            order = np.argsort(-size, kind="stable")
+            state, fresh = np.zeros((len(start), width)), np.ones(len(start), bool)
+            if last is not None and last[0] == keys[0]:
+                state[0], fresh[0] = held, False
+            out = np.empty((len(p), len(names)))
+            active = np.searchsorted(-size[order], -np.arange(size.max()), side="left")
+            for k, n in enumerate(active.tolist()):
+                own = order[:n]
+                rows = start[own] + k
+                state[own], out[rows] = step(state[own], values[rows], fresh[own] if k == 0 else np.zeros(n, bool))
+            last, held = (keys[-1],), state[-1]
+            p[names] = out
+            yield p
 
     kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{n}` double" for n in names])
-    return df.groupBy(part).applyInPandas(run, kinds)
+    return df.repartition(part).sortWithinPartitions(part, t, *([tie] if tie else [])).mapInPandas(run, kinds)
+
+
+def kalman(df: DataFrame, columns: list[str], part: str = "session", t: str = "t", start: float = 1e-4, drift: float = 1e-4, noise: float = 1e-2, tie: str | None = None) -> DataFrame:
+    """Constant-velocity smoothing; the axes share one 2x2 covariance.  A step of no time counts as 1 s; one row stays."""
+    m = len(columns)
+
+    def step(state: np.ndarray, values: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        time, z = values[:, 0], values[:, 1:]
+        before, x, v = state[:, 0], state[:, 1 : 1 + m], state[:, 1 + m : 1 + 2 * m]
+        p00, p01, p11 = state[:, -3], state[:, -2], state[:, -1]
+        dt = time - before
+        dt = np.where(dt > 0, dt, 1.0)
+        a = p00 + 2 * dt * p01 + dt * dt * p11 + drift * dt**4 / 4
+        b = p01 + dt * p11 + drift * dt**3 / 2
+        c = p11 + drift * dt * dt
+        g, h = a / (a + noise), b / (a + noise)
+        ahead = x + dt[:, None] * v
+        e = z - ahead
+        new = np.column_stack((time, ahead + g[:, None] * e, v + h[:, None] * e, (1 - g) * a, (1 - g) * b, c - h * b))
+        if fresh.any():
+            n = int(fresh.sum())
+            new[fresh] = np.column_stack((time[fresh], z[fresh], np.zeros((n, m)), np.full(n, start), np.zeros(n), np.full(n, start)))
+        return new, new[:, 1 : 1 + m]
+
+    return carried(df, columns, [f"{c}_smooth" for c in columns], 4 + 2 * m, step, part, t, tie)
 
 
 def merge_short(df: DataFrame, least: int = 15, part: str = "session") -> DataFrame:
@@ -63,27 +100,21 @@ def merge_short(df: DataFrame, least: int = 15, part: str = "session") -> DataFr
     return df.groupBy(part).applyInPandas(run, f"`{part}` {df.schema[part].dataType.simpleString()}, start_frame long, end_frame long, confidence double, motion_magnitude double")
 
 
-def orientation(df: DataFrame, gyro: tuple[str, str, str] = ("gx", "gy", "gz"), dt: float = 0.01, part: str = "session", t: str = "t") -> DataFrame:
+def orientation(df: DataFrame, gyro: tuple[str, str, str] = ("gx", "gy", "gz"), dt: float = 0.01, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
     """Quaternion (qx, qy, qz, qw) integrated from angular rates, from identity; tiny turns are skipped."""
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(t, kind="stable").reset_index(drop=True)
-        x, y, z, w = 0.0, 0.0, 0.0, 1.0
-        out = np.empty((len(p), 4))
-        for k, r in enumerate(p[list(gyro)].to_numpy(float)):
-            angle = math.sqrt(float(r @ r)) * dt
-            if angle > 1e-10:
-                s = math.sin(angle / 2) / (angle / dt)
-                a, b, c, d = r[0] * s, r[1] * s, r[2] * s, math.cos(angle / 2)
-                x, y, z, w = w * a + x * d + y * c - z * b, w * b - x * c + y * d + z * a, w * c + x * b - y * a + z * d, w * d - x * a - y * b - z * c
-                n = math.sqrt(x * x + y * y + z * z + w * w)
-                x, y, z, w = x / n, y / n, z / n, w / n
-            out[k] = x, y, z, w
-        p[["qx", "qy", "qz", "qw"]] = out
-        return p
-
-    kinds = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"{q} double" for q in ("qx", "qy", "qz", "qw")])
-    return df.groupBy(part).applyInPandas(run, kinds)
+    def step(state: np.ndarray, values: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x, y, z, w = np.where(fresh[:, None], np.array([0.0, 0.0, 0.0, 1.0]), state).T
+        rate = np.sqrt((values[:, 1:] ** 2).sum(axis=1))
+        turned = rate * dt > 1e-10
+        s = np.sin(rate * dt / 2) / np.where(turned, rate, 1.0)
+        a, b, c, d = values[:, 1] * s, values[:, 2] * s, values[:, 3] * s, np.cos(rate * dt / 2)
+        q = np.column_stack((w * a + x * d + y * c - z * b, w * b - x * c + y * d + z * a, w * c + x * b - y * a + z * d, w * d - x * a - y * b - z * c))
+        q /= np.sqrt((q**2).sum(axis=1))[:, None]
+        out = np.where(turned[:, None], q, np.column_stack((x, y, z, w)))
+        return out, out
+
+    return carried(df, list(gyro), ["qx", "qy", "qz", "qw"], 4, step, part, t, tie)
 
 
 def high_pass(x: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:

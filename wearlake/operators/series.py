@@ -8,13 +8,27 @@ from pyspark.sql import functions as F
 from wearlake.functions import geo
 
 
-def _order(part: str, t: str):
-    return Window.partitionBy(part).orderBy(t)
+#: Most elements of a series of numbers that is written out; a damaged number would ask for more.
+MOST_NUMBERS = 10_000_000
 
 
-def motion(df: DataFrame, part: str = "session", t: str = "t") -> DataFrame:
-    """Distance, speed and heading from the row before, and the distance so far; the first row has 0, 0 and the second's heading."""
-    w = _order(part, t)
+def _order(part: str, t: str, tie: str | None = None):
+    return Window.partitionBy(part).orderBy(t, *([tie] if tie else []))
+
+
+def numbers(first: Column, last: Column, most: int = MOST_NUMBERS) -> Column:
+    """The whole numbers from ``first`` to ``last``, none if that is less; over ``most`` of them is an error, not an array."""
+    a, b = first.cast("long"), last.cast("long")
+    wrong = F.raise_error(F.concat(F.lit("a range of numbers is too long: "), a.cast("string"), F.lit(" to "), b.cast("string"))).cast("array<bigint>")
+    return F.when(b < a, F.array().cast("array<bigint>")).when(b - a < most, F.sequence(a, F.greatest(a, b))).otherwise(wrong)
+
+
+def motion(df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
+    """Distance, speed and heading from the row before, and the distance so far; the first row has 0, 0 and the second's heading.
+
+    Rows of one time are in the order of ``tie``, without it in any.
+    """
+    w = _order(part, t, tie)
     at = lambda c: F.lag(c).over(w)
     step = F.coalesce(geo.haversine(at("lat"), at("lon"), F.col("lat"), F.col("lon")), F.lit(0.0))
     head = geo.bearing(at("lat"), at("lon"), F.col("lat"), F.col("lon"))
@@ -24,47 +38,62 @@ def motion(df: DataFrame, part: str = "session", t: str = "t") -> DataFrame:
     return out.withColumn("total_m", F.sum("distance_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def stationary(df: DataFrame, part: str = "session", t: str = "t", speed: str = "speed", below: float = 2.0, seconds: float = 5.0) -> DataFrame:
+def stationary(df: DataFrame, part: str = "session", t: str = "t", speed: str = "speed", below: float = 2.0, seconds: float = 5.0, tie: str | None = None) -> DataFrame:
     """is_stationary: rows of a run below the speed that lasts ``seconds``; segment_id grows at each start of moving."""
-    w = _order(part, t)
+    w = _order(part, t, tie)
     slow = df.withColumn("_slow", F.col(speed) < below)
-    runs = slow.withColumn("_run", F.sum(F.when(F.col("_slow") != F.lag("_slow").over(w), 1).otherwise(0)).over(w))
+    runs = slow.withColumn("_run", F.sum(F.when(F.col("_slow") != F.lag("_slow").over(w), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     inside = Window.partitionBy(part, "_run")
     marked = runs.withColumn("is_stationary", F.col("_slow") & (F.max(t).over(inside) - F.min(t).over(inside) >= seconds))
     starts = F.when(F.lag("is_stationary").over(w) & ~F.col("is_stationary"), 1).otherwise(0)
-    return marked.withColumn("segment_id", F.sum(starts).over(w)).drop("_slow", "_run")
+    return marked.withColumn("_starts", starts).withColumn("segment_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_slow", "_run", "_starts")
+
 
+def _neighbours(samples: DataFrame, grid: DataFrame, columns: list[str], part: str, t: str, block: float, tie: str | None) -> DataFrame:
+    """(part, t, _p, _n): for each grid time the last sample at or before it and the first after it, null where there is none.
 
-def interpolate(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t") -> DataFrame:
-    """Linear interpolation of samples at grid times, held at the first and last sample outside."""
-    value = F.struct(F.col(t).alias("t"), *columns)
-    both = samples.select(part, t, F.lit(0).alias("_grid"), value.alias("_s")).unionByName(grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True)
-    w = Window.partitionBy(part).orderBy(t, "_grid")
-    both = both.withColumn("_p", F.last("_s", True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("_n", F.first("_s", True).over(w.rowsBetween(0, Window.unboundedFollowing)))
+    A series is cut into blocks of ``block`` seconds, so that a long one isn't one task; each block has the nearest
+    samples outside it from a window over one row a block.
+    """
+    value = F.struct(F.col(t).alias("t"), *([F.col(tie).alias("tie")] if tie else []), *columns)
+    rows = samples.select(part, t, F.lit(0).alias("_grid"), value.alias("_s")).unionByName(grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True)
+    rows = rows.withColumn("_block", F.floor(F.col(t) / block))
+    w = Window.partitionBy(part, "_block")
+    whole = (Window.unboundedPreceding, 0)
+    both = rows.withColumn("_p", F.last("_s", True).over(w.orderBy(t, "_grid", "_s").rowsBetween(*whole)))
+    both = both.withColumn("_n", F.last("_s", True).over(w.orderBy(F.desc(t), F.desc("_grid"), F.desc("_s")).rowsBetween(*whole))).filter("_grid = 1")
+    by = Window.partitionBy(part)
+    ends = rows.groupBy(part, "_block").agg(F.max("_s").alias("_high"), F.min("_s").alias("_low"))
+    earlier = F.last("_high", True).over(by.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    later = F.last("_low", True).over(by.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(part, "_block", earlier.alias("_earlier"), later.alias("_later"))
+    joined = both.join(ends, [part, "_block"])
+    return joined.select(part, t, F.coalesce("_p", "_earlier").alias("_p"), F.coalesce("_n", "_later").alias("_n"))
+
+
+def interpolate(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t", block: float = 86_400.0, tie: str | None = None) -> DataFrame:
+    """Linear interpolation of samples at grid times, held at the first and last sample outside; of samples of one time the last by ``tie`` counts."""
+    both = _neighbours(samples, grid, columns, part, t, block, tie)
     share = (F.col(t) - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
 
     def at(c: str) -> Column:
         p, n = F.col(f"_p.{c}"), F.col(f"_n.{c}")
         return F.when(F.col("_p").isNull(), n).when(F.col("_n").isNull() | (F.col("_p.t") == F.col(t)), p).otherwise(p + (n - p) * share)
 
-    return both.filter("_grid = 1").select(part, t, *(at(c).alias(c) for c in columns))
+    return both.select(part, t, *(at(c).alias(c) for c in columns))
 
 
-def as_of(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t") -> DataFrame:
+def as_of(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t", block: float = 86_400.0, tie: str | None = None) -> DataFrame:
     """The latest sample at or before each grid time; before the first, the first."""
-    both = samples.select(part, t, F.lit(0).alias("_grid"), F.struct(*columns).alias("_s")).unionByName(grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True)
-    w = Window.partitionBy(part).orderBy(t, "_grid")
-    back = F.last("_s", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_s", True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return both.withColumn("_v", F.coalesce(back, ahead)).filter("_grid = 1").select(part, t, *(F.col(f"_v.{c}") for c in columns))
+    both = _neighbours(samples, grid, columns, part, t, block, tie)
+    return both.withColumn("_v", F.coalesce("_p", "_n")).select(part, t, *(F.col(f"_v.{c}").alias(c) for c in columns))
 
 
 def grid(df: DataFrame, step: float, part: str = "session", t: str = "t", closed: bool = True) -> DataFrame:
     """Times from the first sample every ``step``; closed: until the last one is reached or passed, else before it."""
     ends = df.groupBy(part).agg(F.min(t).alias("_a"), F.max(t).alias("_b"))
-    n = F.ceil((F.col("_b") - F.col("_a")) / step).cast("int") + (1 if closed else 0)
-    return ends.withColumn("_k", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")))).select(part, (F.col("_a") + F.col("_k") * step).alias(t))
+    n = F.ceil((F.col("_b") - F.col("_a")) / step).cast("long") + (1 if closed else 0)
+    return ends.withColumn("_k", F.explode(numbers(F.lit(0), n - 1))).select(part, (F.col("_a") + F.col("_k") * step).alias(t))
 
 
 def first_by_time(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -99,6 +128,16 @@ def gaps(df: DataFrame, part: str = "session", t: str = "t") -> DataFrame:
     return d.groupBy(part).agg(F.median("_d").alias("median_gap"), F.max("_d").alias("max_gap"))
 
 
+def geo_embedding(df: DataFrame, part: str = "session", fastest: float = 120.0) -> DataFrame:
+    """``embedding`` of a fix: latitude and longitude in [-1, 1] and altitude in [0, 1] over its series, speed in [0, 1] up
+    to ``fastest`` km/h, sine and cosine of the heading.  Missing altitude, speed and heading are 0."""
+    for c in ("alt", "speed_kmh", "heading"):
+        df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0))
+    for c, low in (("lat", -1.0), ("lon", -1.0), ("alt", 0.0)):
+        df = min_max(df, c, low, 1.0, part)
+    return df.withColumn("embedding", F.array("lat_n", "lon_n", "alt_n", geo.speed_share(F.col("speed_kmh"), fastest), *geo.cyclic(F.col("heading")))).drop("lat_n", "lon_n", "alt_n")
+
+
 def hysteresis(df: DataFrame, part: str = "session", i: str = "frame", m: str = "magnitude", high: float = 3.0, low: float = 1.0) -> DataFrame:
     """Action segments: from above ``high`` to the first below ``low``.  The mean includes the closing frame; a series
     without any is one segment of confidence 0.5.  Needs low <= high."""

@@ -41,7 +41,7 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(F.col("conv_id").alias("session"), F.col("turn").alias("ord"), (F.col("turn") * 2.0).alias("r_start"), (F.col("turn") * 2.0 + 2.5).alias("r_end"), "text")
 
 
-TRANSCRIPTS = "r AS (SELECT conv_id AS session, turn AS ord, turn * 2e0 AS r_start, turn * 2e0 + 2.5e0 AS r_end, substr(text, 1, 40) AS text FROM conversations)"
+TRANSCRIPTS = "r AS (SELECT conv_id AS session, turn AS ord, turn * 2e0 AS r_start, turn * 2e0 + 2.5e0 AS r_end, text FROM conversations)"
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("end") / 3.2) - 1))).select("session", "segment", (F.col("segment") * 3.2).alias("l_start"), (F.col("segment") * 3.2 + 3.2).alias("l_end"))
 
 
-SPANS = "l AS (SELECT session, segment, segment * 3.2e0 AS l_start, segment * 3.2e0 + 3.2e0 AS l_end FROM (SELECT DISTINCT conv_id AS session FROM conversations), (VALUES (0::BIGINT), (1::BIGINT)) v(segment))"
+SPANS = """l AS (SELECT session, segment, segment * 3.2e0 AS l_start, segment * 3.2e0 + 3.2e0 AS l_end
+ FROM (SELECT conv_id AS session, unnest(range(0, ceil((max(turn) * 2e0 + 2.5e0) / 3.2e0)::BIGINT)) AS segment FROM conversations GROUP BY conv_id))"""
 
 
 def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:

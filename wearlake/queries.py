@@ -2,44 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlake.functions import geo, text, vector
-from wearlake.operators import assembly, catalog, folds, intervals, labeling, series, terms, validation
+from wearlake.functions import formats, geo, text, vector
+from wearlake.operators import assembly, catalog, episodes, folds, intervals, labeling, series, terms, validation
 from wearlake.plans import standins as st
+from wearlake.registry import query, r6
 from wearlake.sources import writers
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def r6(*names: str) -> list:
-    """Rounded to 6 places, so that the order of summation doesn't show."""
-    return [F.round(n, 6).alias(n) for n in names]
-
-
 _RUNS = f"""WITH {st.SENSOR}, a AS (SELECT *, speed < 2 AS slow FROM s),
 b AS (SELECT *, CASE WHEN slow <> lag(slow) OVER w THEN 1 ELSE 0 END AS turned FROM a WINDOW w AS (PARTITION BY session ORDER BY t)),
 d AS (SELECT *, sum(turned) OVER (PARTITION BY session ORDER BY t) AS run FROM b),
@@ -51,21 +22,25 @@ m AS (SELECT *, sum(started) OVER (PARTITION BY session ORDER BY t) AS segment_i
 @query(_RUNS + """ SELECT session, segment_id::BIGINT AS segment_id, is_stationary, count(*) AS n, round(min(t), 6) AS t_first, round(max(t), 6) AS t_last, round(avg(value), 6) AS mean_value
  FROM m GROUP BY ALL""")
 def gps_stationary_segments(spark, d):
-    rows = series.stationary(st.sensor(spark, d))
+    rows = series.stationary(st.sensor(spark, d), tie="event_id")
     out = rows.groupBy("session", F.col("segment_id").cast("long").alias("segment_id"), "is_stationary")
     return out.agg(F.count("*").alias("n"), F.round(F.min("t"), 6).alias("t_first"), F.round(F.max("t"), 6).alias("t_last"), F.round(F.avg("value"), 6).alias("mean_value"))
 
 
-_HAV = "2 * 6371000.0::DOUBLE * asin(sqrt(greatest(0e0, least(1e0, pow(sin(radians({b} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({b})) * pow(sin(radians({d} - {c}) / 2), 2)))))"
+HAV = """CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL AND {d} IS NOT NULL THEN
+ 2 * 6371000.0::DOUBLE * asin(sqrt(greatest(0e0, least(1e0, pow(sin(radians({b} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({b})) * pow(sin(radians({d} - {c}) / 2), 2))))) END"""
 
 
-@query(f"""WITH {st.SENSOR}, p AS (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon, lag(t) OVER w AS pt FROM s WINDOW w AS (PARTITION BY session ORDER BY t)),
-q AS (SELECT *, coalesce({_HAV.format(a='plat', b='lat', c='plon', d='lon')}, 0) AS distance_m,
- fmod(degrees(atan2(sin(radians(lon - plon)) * cos(radians(lat)), cos(radians(plat)) * sin(radians(lat)) - sin(radians(plat)) * cos(radians(lat)) * cos(radians(lon - plon)))) + 360, 360) AS head FROM p)
-SELECT session, event_id, round(distance_m, 6) AS distance_m, round(coalesce(distance_m / greatest(t - pt, 1e-6) * 3.6, 0), 6) AS speed_kmh,
- round(coalesce(head, lead(head) OVER w, 0), 6) AS heading, round(sum(distance_m) OVER (PARTITION BY session ORDER BY t ROWS UNBOUNDED PRECEDING), 4) AS total_m FROM q WINDOW w AS (PARTITION BY session ORDER BY t)""")
+MOTION = f"""p AS (SELECT *, lag(lat) OVER w AS plat, lag(lon) OVER w AS plon, lag(t) OVER w AS pt FROM s WINDOW w AS (PARTITION BY session ORDER BY t, event_id)),
+q AS (SELECT *, coalesce({HAV.format(a='plat', b='lat', c='plon', d='lon')}, 0) AS distance_m,
+ fmod(degrees(atan2(sin(radians(lon - plon)) * cos(radians(lat)), cos(radians(plat)) * sin(radians(lat)) - sin(radians(plat)) * cos(radians(lat)) * cos(radians(lon - plon)))) + 360, 360) AS head FROM p),
+motion AS (SELECT *, coalesce(distance_m / greatest(t - pt, 1e-6) * 3.6, 0) AS speed_kmh, coalesce(head, lead(head) OVER w, 0) AS heading, sum(distance_m) OVER (PARTITION BY session ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS total_m
+ FROM q WINDOW w AS (PARTITION BY session ORDER BY t, event_id))"""
+
+
+@query(f"""WITH {st.SENSOR}, {MOTION} SELECT session, event_id, round(distance_m, 6) AS distance_m, round(speed_kmh, 6) AS speed_kmh, round(heading, 6) AS heading, round(total_m, 4) AS total_m FROM motion""")
 def gps_motion(spark, d):
-    return series.motion(st.sensor(spark, d)).select("session", "event_id", *r6("distance_m", "speed_kmh", "heading"), F.round("total_m", 4).alias("total_m"))
+    return series.motion(st.sensor(spark, d), tie="event_id").select("session", "event_id", *r6("distance_m", "speed_kmh", "heading"), F.round("total_m", 4).alias("total_m"))
 
 
 _GRID = f"""WITH {st.SENSOR}, ends AS (SELECT session, min(t) AS a, max(t) AS b FROM s GROUP BY session),
@@ -78,13 +53,13 @@ SELECT p.session, round(p.t, 6) AS t, round(CASE WHEN pt IS NULL THEN nv WHEN nt
 FROM p JOIN n ON p.session = n.session AND p.t = n.t""")
 def interp_resample(spark, d):
     s = st.sensor(spark, d)
-    return series.interpolate(s, series.grid(s, 3600.0), ["value"]).select("session", *r6("t", "value"))
+    return series.interpolate(s, series.grid(s, 3600.0), ["value"], tie="event_id").select("session", *r6("t", "value"))
 
 
 @query(_GRID + """ SELECT g.session, round(g.t, 6) AS t, s.kind FROM g ASOF JOIN s ON g.session = s.session AND g.t >= s.t""")
 def asof_ffill(spark, d):
     s = st.sensor(spark, d)
-    return series.as_of(s, series.grid(s, 3600.0), ["kind"]).select("session", *r6("t"), "kind")
+    return series.as_of(s, series.grid(s, 3600.0), ["kind"], tie="event_id").select("session", *r6("t"), "kind")
 
 
 @query(f"""WITH {st.TRANSCRIPTS}, {st.SPANS}, o AS (SELECT l.session, l.segment, r.ord, trim(r.text) AS text FROM l JOIN r USING (session)
@@ -137,10 +112,11 @@ def temporal_gaps(spark, d):
     return assembly.time_gaps(st.chunks(spark, d)).select("session", "chunk", *r6("gap"))
 
 
-@query(f"""WITH {st.CHUNKS} SELECT session, count(DISTINCT chunk) AS found, max(chunk) - min(chunk) + 1 - count(DISTINCT chunk) AS missing, round(100e0 * count(DISTINCT chunk) / (max(chunk) - min(chunk) + 1), 2) AS percent,
- round(max(end_time) - min(start_time), 6) AS seconds, floor((max(end_time) - min(start_time)) * 30)::BIGINT AS frames FROM c GROUP BY session""")
+@query(f"""WITH {st.CHUNKS}, n AS (SELECT *, lead(chunk) OVER (PARTITION BY session ORDER BY chunk) - chunk - 1 AS missing FROM c) SELECT session, count(DISTINCT chunk) AS found, max(chunk) - min(chunk) + 1 - count(DISTINCT chunk) AS missing, round(100e0 * count(DISTINCT chunk) / (max(chunk) - min(chunk) + 1), 2) AS percent,
+ round(max(end_time) - min(start_time), 6) AS seconds, floor((max(end_time) - min(start_time)) * 30)::BIGINT AS frames,
+ coalesce(string_agg(chunk || '+' || missing, ',' ORDER BY chunk) FILTER (WHERE missing > 0), '') AS gaps FROM n GROUP BY session""")
 def coverage_stats(spark, d):
-    return assembly.coverage(st.chunks(spark, d)).select("session", "found", "missing", "percent", *r6("seconds"), "frames")
+    return assembly.coverage(st.chunks(spark, d)).select("session", "found", "missing", "percent", *r6("seconds"), "frames", F.array_join(F.transform("gaps", lambda g: F.concat_ws("+", g["after_chunk"], g["missing"])), ",").alias("gaps"))
 
 
 @query(f"""WITH {st.CHUNKS}, x AS (SELECT session, unnest(range(min(chunk), max(chunk) + 1)) AS chunk FROM c GROUP BY session) SELECT session, count(*) AS absent FROM x ANTI JOIN c USING (session, chunk) GROUP BY session""")
@@ -159,13 +135,13 @@ def zscore_normalize(spark, d):
     return series.z_score(st.sensor(spark, d), ["value"]).select("session", "event_id", *r6("value_z"))
 
 
-@query(f"""WITH {st.SENSOR} SELECT session, event_id, round((lat - min(lat) OVER w) / greatest(max(lat) OVER w - min(lat) OVER w, 1e-9) * 2 - 1, 6) AS lat_n, round((speed - min(speed) OVER w) / greatest(max(speed) OVER w - min(speed) OVER w, 1e-9), 6) AS speed_n,
- round(sin(radians(speed * 40)), 6) AS heading_sin, round(cos(radians(speed * 40)), 6) AS heading_cos, round(greatest(0, least(1, speed / 120)), 6) AS speed_clip FROM s WINDOW w AS (PARTITION BY session)""")
+@query(f"""WITH {st.SENSOR} SELECT session, event_id, round((lat - min(lat) OVER w) / greatest(max(lat) OVER w - min(lat) OVER w, 1e-9) * 2 - 1, 6) AS lat_n, round((lon - min(lon) OVER w) / greatest(max(lon) OVER w - min(lon) OVER w, 1e-9) * 2 - 1, 6) AS lon_n,
+ round((event_id % 500 - min(event_id % 500) OVER w) / greatest(max(event_id % 500) OVER w - min(event_id % 500) OVER w, 1e-9), 6) AS alt_n, round(greatest(0, least(1, (event_id % 160) / 120e0)), 6) AS speed_n,
+ round(sin(radians(speed * 40)), 6) AS heading_sin, round(cos(radians(speed * 40)), 6) AS heading_cos FROM s WINDOW w AS (PARTITION BY session)""")
 def geo_embedding(spark, d):
-    s = series.min_max(series.min_max(st.sensor(spark, d), "lat", -1.0, 1.0), "speed", 0.0, 1.0)
-    head = F.radians(F.col("speed") * 40)
-    s = s.withColumns({"heading_sin": F.sin(head), "heading_cos": F.cos(head), "speed_clip": F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("speed") / 120))})
-    return s.select("session", "event_id", *r6("lat_n", "speed_n", "heading_sin", "heading_cos", "speed_clip"))
+    s = st.sensor(spark, d).withColumns({"alt": F.col("event_id") % 500, "speed_kmh": F.col("event_id") % 160, "heading": F.col("speed") * 40})
+    names = ("lat_n", "lon_n", "alt_n", "speed_n", "heading_sin", "heading_cos")
+    return series.geo_embedding(s).select("session", "event_id", *(F.round(F.get("embedding", F.lit(k)), 6).alias(n) for k, n in enumerate(names)))
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, event_id, round(CASE WHEN max(abs(value)) OVER w < 1e-8 THEN value ELSE value / max(abs(value)) OVER w END, 6) AS value_p FROM s WINDOW w AS (PARTITION BY session)""")
@@ -183,17 +159,15 @@ def quat_delta(spark, d):
     return series.deltas(st.sensor(spark, d), ["value", "speed"], [0.0, 1.0]).select("session", "event_id", *r6("d_value", "d_speed"))
 
 
-@query(f"""WITH {st.EPISODES} SELECT id, CASE WHEN row_number() OVER (ORDER BY id) <= greatest(1, floor(count(*) OVER () * 0.8)) THEN 'train' ELSE 'val' END AS split FROM e WHERE scenario = '1-URGENT'""")
+@query(f"""WITH {st.EPISODES} SELECT id, CASE WHEN row_number() OVER (ORDER BY id) <= greatest(1, floor(count(*) OVER () * 0.8)) THEN 'train' ELSE 'val' END AS split FROM e""")
 def train_val_split(spark, d):
     return series.train_share(st.episodes(spark, d).select("id"), ["id"])
 
 
 @query(f"""WITH {st.EPISODES} SELECT session, id, (row_number() OVER (PARTITION BY session ORDER BY id) - 1 + 5)::BIGINT AS episode_index FROM e WHERE frames >= 10""")
 def episode_numbering(spark, d):
-    from pyspark.sql import Window
-
     e = st.episodes(spark, d).filter("frames >= 10")
-    return e.select("session", "id", (F.row_number().over(Window.partitionBy("session").orderBy("id")) - 1 + 5).cast("long").alias("episode_index"))
+    return episodes.numbered(e, ["id"], "episode_index", base=5).select("session", "id", "episode_index")
 
 
 def _query_vector(spark, d) -> list[float]:
@@ -207,7 +181,7 @@ def semantic_topk(spark, d):
     return catalog.semantic_top_k(e, _query_vector(spark, d), 10).select("id", "label", *r6("similarity"))
 
 
-@query(f"""WITH {st.EPISODES}, m AS (SELECT id, {_HAV.format(a='12.97::DOUBLE', b='lat', c='77.59::DOUBLE', d='lon')} AS distance_m FROM e) SELECT id, round(distance_m, 4) AS distance_m FROM m WHERE distance_m <= 30000""")
+@query(f"""WITH {st.EPISODES}, m AS (SELECT id, {HAV.format(a='12.97::DOUBLE', b='lat', c='77.59::DOUBLE', d='lon')} AS distance_m FROM e) SELECT id, round(distance_m, 4) AS distance_m FROM m WHERE distance_m <= 30000""")
 def geo_radius(spark, d):
     return catalog.geo_radius(st.episodes(spark, d), 12.97, 77.59, 30_000.0).select("id", F.round("distance_m", 4).alias("distance_m"))
 
@@ -268,8 +242,8 @@ def _like(words: list[str]) -> str:
 
 _ACTION = "CASE " + " ".join(f"WHEN {_like(w)} THEN '{a}'" for a, w in text.ACTIONS.items()) + " END"
 _SCENARIO = "CASE " + " ".join(f"WHEN {_like(w)} THEN '{a}'" for a, w in text.SCENARIOS.items()) + " END"
-_LABELS = f"""WITH k AS (SELECT doc_id, substr(text, 1, 60) AS said, lower(substr(text, 1, 60)) AS t, ['high', 'medium', 'low'][(doc_id % 3 + 1)::INT] AS motion_level, doc_id % 4 = 0 AS is_stationary,
- CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 25)::DOUBLE END AS speed_kmh FROM documents),
+_LABELS = f"""WITH k AS (SELECT doc_id, text AS said, lower(text) AS t, ['high', 'medium', 'low'][(doc_id % 3 + 1)::INT] AS motion_level, doc_id % 4 = 0 AS is_stationary,
+ CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 25)::DOUBLE END AS speed_kmh, [0.8, 0.7, 0.6][(doc_id % 3 + 1)::INT]::DOUBLE AS motion_conf FROM documents),
 w AS (SELECT *, {_ACTION} AS a_word, {_SCENARIO} AS s_word FROM k),
 x AS (SELECT *, coalesce(a_word, CASE WHEN is_stationary THEN 'idle' WHEN motion_level IN ('high', 'medium') THEN 'navigate' ELSE 'other' END) AS action_type,
  CASE WHEN a_word IS NOT NULL THEN 0.85 WHEN is_stationary THEN 0.6 WHEN motion_level = 'high' THEN 0.5 WHEN motion_level = 'medium' THEN 0.4 ELSE 0.3 END::DOUBLE AS action_conf,
@@ -281,13 +255,16 @@ def _segments(spark, d) -> DataFrame:
     k = F.col("doc_id")
     return docs.select(
         "doc_id", "text", F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), (k % 3 + 1).cast("int")).alias("motion_level"),
-        (k % 4 == 0).alias("is_stationary"), F.when(k % 5 != 0, (k % 25).cast("double")).alias("speed_kmh"), F.lit(0.7).alias("motion_conf"), F.lit(0.5).alias("gps_conf"),
+        (k % 4 == 0).alias("is_stationary"), F.when(k % 5 != 0, (k % 25).cast("double")).alias("speed_kmh"), F.element_at(F.array(F.lit(0.8), F.lit(0.7), F.lit(0.6)), (k % 3 + 1).cast("int")).alias("motion_conf"), F.lit(0.5).alias("gps_conf"),
     )
 
 
-@query(_LABELS + " SELECT doc_id, action_type, action_conf, scenario FROM x")
+_TOLD = "'motion' || CASE WHEN said <> '' THEN ',whisper' ELSE '' END || CASE WHEN speed_kmh IS NOT NULL THEN ',gps' ELSE '' END"
+
+
+@query(_LABELS + f" SELECT doc_id, action_type, action_conf, scenario, round(0.4 * action_conf + 0.3 * motion_conf + 0.15, 2) AS confidence, {_TOLD} AS sources FROM x")
 def action_scenario_label(spark, d):
-    return labeling.auto_label(_segments(spark, d), "general").select("doc_id", "action_type", "action_conf", "scenario")
+    return labeling.auto_label(_segments(spark, d), "general").select("doc_id", "action_type", "action_conf", "scenario", "confidence", "sources")
 
 
 def _replaced(x: str) -> str:
@@ -301,7 +278,7 @@ _TEMPLATE = lambda k: "CASE action_type " + " ".join(f"WHEN '{a}' THEN '{t[k]}'"
 
 @query(_LABELS + f""" SELECT doc_id, CASE WHEN length(said) > 3 THEN said ELSE {_TEMPLATE(0)} END AS instruction_hi,
  CASE WHEN length(said) > 3 THEN CASE WHEN {_replaced('said')} <> said THEN {_replaced('said')} ELSE '[' || action_type || ']' END ELSE {_TEMPLATE(1)} END AS instruction_en,
- 'motion' || CASE WHEN said <> '' THEN ',whisper' ELSE '' END || CASE WHEN speed_kmh IS NOT NULL THEN ',gps' ELSE '' END AS sources FROM x""")
+ {_TOLD} AS sources FROM x""")
 def instruction_build(spark, d):
     return labeling.auto_label(_segments(spark, d), "general").select("doc_id", "instruction_hi", "instruction_en", "sources")
 
@@ -319,7 +296,7 @@ for _k in range(4):
     _MD5 = f"((({_MD5}) * {2**32 % _CAP} + ('0x' || substr(md5(g), {8 * _k + 1}, 8))::BIGINT) % {_CAP})"
 
 
-@query(f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(substr(text, 1, 200)), '{text.TOKEN}')) AS tok FROM documents),
+@query(f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{text.TOKEN}')) AS tok FROM documents),
 z AS (SELECT doc_id, list_position({_VOCAB}, tok) - 1 AS slot FROM t WHERE list_contains({_VOCAB}, tok)
  UNION ALL SELECT doc_id, {len(text.VOCABULARY)} + {_MD5} FROM (SELECT doc_id, substr(tok, j, 2) AS g FROM (SELECT doc_id, tok, unnest(range(1, length(tok))) AS j FROM t))),
 c AS (SELECT doc_id, slot, count(*) AS n FROM z GROUP BY ALL)
@@ -331,18 +308,25 @@ def embed_text_tf(spark, d):
     return n.withColumn("weight", F.round(F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy("doc_id"))), 6))
 
 
-@query("""SELECT doc_id, array_to_string(list_transform(range(1, 17), lambda j: CASE WHEN j <= length(text) THEN unicode(substr(text, j::INT, 1)) % 32000 ELSE 0 END), ',') AS tokens FROM documents""")
+@query("""SELECT doc_id, array_to_string(list_transform(range(1, 51), lambda j: CASE WHEN j <= length(text) THEN unicode(substr(text, j::INT, 1)) % 32000 ELSE 0 END), ',') AS tokens,
+ array_to_string(list_transform(range(1, 51), lambda j: (j <= length(text))::INT), ',') AS mask FROM documents""")
 def tokenize_codepoints(spark, d):
     ids, mask = text.code_points(F.col("text"), 50), text.attention_mask(F.col("text"), 50)
     return st.read(spark, d, "documents").select("doc_id", *(F.array_join(c.cast("array<string>"), ",").alias(n) for c, n in ((ids, "tokens"), (mask, "mask"))))
 
 
+@query(f"""WITH {st.EPISODES} SELECT session, CASE WHEN count(*) >= 2 THEN 'LINESTRING(' || string_agg(frames || ' ' || id, ', ' ORDER BY id) || ')' END AS line FROM e GROUP BY session""")
+def wkt_lines(spark, d):
+    points = F.array_sort(F.collect_list(F.struct(F.col("id").alias("lat"), F.col("frames").alias("lon"))))
+    return st.episodes(spark, d).groupBy("session").agg(points.alias("points")).select("session", geo.wkt_line(F.col("points")).alias("line"))
+
+
 @query(f"""WITH {st.EPISODES} SELECT id, 'POINT(' || frames || ' ' || session || ')' AS point FROM e""")
 def wkt_format(spark, d):
     return st.episodes(spark, d).select("id", geo.wkt_point(F.col("session"), F.col("frames")).alias("point"))
 
 
-@query("SELECT vec_id, '[' || array_to_string(list_transform(embedding[1:4], lambda x: printf('%.8f', x::DOUBLE)), ',') || ']' AS literal FROM embeddings")
+@query("SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: printf('%.8f', x::DOUBLE)), ',') || ']' AS literal FROM embeddings")
 def vector_literal(spark, d):
     return st.read(spark, d, "embeddings").select("vec_id", vector.literal(F.col("embedding")).alias("literal"))
 
@@ -384,18 +368,22 @@ def labeling_completion(spark, d):
 def _validated(spark, d) -> DataFrame:
     e = st.episodes(spark, d)
     k = F.col("id")
-    flags = {f"has_{c}": F.lit(True) for c in validation.REQUIRED} | {"has_audio": k % 11 != 0}
+    flags = {f"has_{c}": k % 11 != n for n, c in enumerate(validation.REQUIRED)}
+    values = F.array((k % 130).cast("double"), F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(0.0), F.when(k % 19 == 0, F.lit(float("-inf"))).otherwise(0.0))
     return e.withColumns(flags | {
-        "path": k.cast("string"), "height": (k % 100 + 20).cast("int"), "width": F.lit(640), "channels": (k % 5).cast("int"), "audio_rows": F.col("frames"), "imu_rows": F.col("frames") + (k % 13 == 0).cast("long"),
-        "action_rows": F.col("frames"), "instruction": F.when(k % 6 == 0, " ").otherwise("go"), "action_values": F.array((k % 130).cast("double"), F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(0.0)),
+        "path": k.cast("string"), "height": (k % 100 + 20).cast("int"), "width": (k % 70 * 30).cast("int"), "channels": (k % 5).cast("int"), "audio_rows": F.col("frames") - (k % 23 == 0).cast("long"),
+        "imu_rows": F.col("frames") + (k % 13 == 0).cast("long"), "action_rows": F.col("frames") + (k % 29 == 0).cast("long"), "instruction": F.when(k % 6 == 0, " ").otherwise("go"), "action_values": values,
     })
 
 
+_NAMED = ", ".join(f"'{c}'" for c in validation.REQUIRED)
 _VALID = f"""WITH {st.EPISODES}, v AS (
- SELECT id, 'missing_dataset' AS "check", 'audio' AS detail FROM e WHERE id % 11 = 0 UNION ALL SELECT id, 'min_frames', frames::VARCHAR FROM e WHERE frames < 5
+ SELECT id, 'missing_dataset' AS "check", [{_NAMED}][(id % 11 + 1)::INT] AS detail FROM e WHERE id % 11 < {len(validation.REQUIRED)} UNION ALL SELECT id, 'min_frames', frames::VARCHAR FROM e WHERE frames < 5
  UNION ALL SELECT id, 'channels', (id % 5)::VARCHAR FROM e WHERE id % 5 NOT IN (1, 3, 4) UNION ALL SELECT id, 'height', (id % 100 + 20)::VARCHAR FROM e WHERE id % 100 + 20 < 32
- UNION ALL SELECT id, 'alignment', 'imu:' || (frames + 1) FROM e WHERE id % 13 = 0 UNION ALL SELECT id, 'instruction', 'empty' FROM e WHERE id % 6 = 0
- UNION ALL SELECT id, 'action_range', 'over limit' FROM e WHERE id % 130 > 100 UNION ALL SELECT id, 'nan', 'action' FROM e WHERE id % 17 = 0)"""
+ UNION ALL SELECT id, 'width', (id % 70 * 30)::VARCHAR FROM e WHERE id % 70 * 30 < 32 OR id % 70 * 30 > 1920
+ UNION ALL SELECT id, 'alignment', 'audio:' || (frames - 1) FROM e WHERE id % 23 = 0 UNION ALL SELECT id, 'alignment', 'imu:' || (frames + 1) FROM e WHERE id % 13 = 0 UNION ALL SELECT id, 'alignment', 'action:' || (frames + 1) FROM e WHERE id % 29 = 0
+ UNION ALL SELECT id, 'instruction', 'empty' FROM e WHERE id % 6 = 0
+ UNION ALL SELECT id, 'action_range', 'over limit' FROM e WHERE id % 130 > 100 UNION ALL SELECT id, 'nan', 'action' FROM e WHERE id % 17 = 0 UNION ALL SELECT id, 'inf', 'action' FROM e WHERE id % 19 = 0)"""
 
 
 @query(_VALID + ' SELECT id::VARCHAR AS path, "check", detail FROM v')
@@ -405,32 +393,31 @@ def validation_errors(spark, d):
 
 @query(_VALID + " SELECT count(*) AS total, count(*) FILTER (WHERE n IS NULL) AS valid, count(n) AS invalid, sum(coalesce(n, 0))::BIGINT AS errors FROM e LEFT JOIN (SELECT id, count(*) AS n FROM v GROUP BY id) USING (id)")
 def validation_report(spark, d):
-    e = _validated(spark, d)
-    return validation.report(e, validation.validate(e))
+    return validation.report(_validated(spark, d))
 
 
-@query(f"""WITH {st.FRAMES}, p AS (SELECT * FROM f WHERE session < 5 AND frame < 40) SELECT session, frame, round(value * 2, 6) AS w0, round(coalesce(lead(value) OVER (PARTITION BY session ORDER BY frame), 0) * 2, 6) AS w1 FROM p""")
+@query(f"""WITH {st.FRAMES} SELECT session, frame, round(value * 2, 6) AS w0, round(coalesce(lead(value) OVER (PARTITION BY session ORDER BY frame), 0) * 2, 6) AS w1 FROM f""")
 def audio_window(spark, d):
     w = intervals.window_rows(st.frames(spark, d), "frame", "value", 2)
     return w.select("session", "frame", F.round(F.col("window")[0] * 2, 6).alias("w0"), F.round(F.col("window")[1] * 2, 6).alias("w1"))
 
 
-@query(f"""WITH {st.EPISODES} SELECT id, CASE WHEN session IS NULL THEN false ELSE regexp_matches('s-' || session, '^[a-zA-Z0-9][a-zA-Z0-9_-]{{1,127}}$') END AS ok, coalesce(TRY_CAST(list_last(string_split('ep_' || id, '_')) AS BIGINT), -1) AS episode_index,
+_NAMES = "CASE id % 4 WHEN 0 THEN 's-' || session WHEN 1 THEN '0F8FAD5B-D9CB-469F-A165-' || lpad(id::VARCHAR, 12, '0') WHEN 2 THEN '-' || session ELSE 'x' END"
+
+
+@query(f"""WITH {st.EPISODES} SELECT id, coalesce(regexp_matches({_NAMES}, '^[a-zA-Z0-9][a-zA-Z0-9_-]{{1,127}}$'), false) AS ok, coalesce(TRY_CAST(list_last(string_split(CASE WHEN id % 3 = 0 THEN 'ep_x' ELSE 'ep_' || id END, '_')) AS BIGINT), -1) AS episode_index,
  lpad((frames // 60)::VARCHAR, 2, '0') || ':' || lpad((frames % 60)::VARCHAR, 2, '0') AS clock FROM e""")
 def format_checks(spark, d):
-    e = st.episodes(spark, d)
-    return e.select(
-        "id", F.coalesce(F.concat(F.lit("s-"), F.col("session").cast("string")).rlike("^[a-zA-Z0-9][a-zA-Z0-9_-]{1,127}$"), F.lit(False)).alias("ok"),
-        F.coalesce(F.element_at(F.split(F.concat(F.lit("ep_"), F.col("id").cast("string")), "_"), -1).try_cast("bigint"), F.lit(-1)).alias("episode_index"),
-        F.concat(F.lpad(F.floor(F.col("frames") / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((F.col("frames") % 60).cast("string"), 2, "0")).alias("clock"),
-    )
+    k, text_ = F.col("id"), F.col("session").cast("string")
+    uuid = F.concat(F.lit("0F8FAD5B-D9CB-469F-A165-"), F.lpad(k.cast("string"), 12, "0"))
+    name = F.when(k % 4 == 0, F.concat(F.lit("s-"), text_)).when(k % 4 == 1, uuid).when(k % 4 == 2, F.concat(F.lit("-"), text_)).otherwise("x")
+    stem = F.when(k % 3 == 0, "ep_x").otherwise(F.concat(F.lit("ep_"), k.cast("string")))
+    return st.episodes(spark, d).select("id", formats.session_name_ok(name).alias("ok"), formats.episode_index(stem).alias("episode_index"), formats.clock(F.col("frames")).alias("clock"))
 
 
-@query(f"""WITH {st.EPISODES} SELECT id, round(CASE WHEN frames < 200 THEN 3e-4 * frames / 200 ELSE greatest(1e-6, 1e-6 + (3e-4 - 1e-6) * 0.5 * (1 + cos(pi() * (frames - 200) / 300))) END, 9) AS rate FROM e""")
+@query(f"""WITH {st.EPISODES} SELECT id, round(CASE WHEN frames * 5 < 500 THEN 3e-4 * (frames * 5 + 1) / 500 ELSE 1e-6 + (3e-4 - 1e-6) / 2 * (1 + cos(pi() * (frames * 5 - 499) / 3000)) END, 9) AS rate FROM e""")
 def warmup_rate(spark, d):
-    n = F.col("frames")
-    rate = F.when(n < 200, 3e-4 * n / 200).otherwise(F.greatest(F.lit(1e-6), 1e-6 + F.lit(3e-4 - 1e-6) * 0.5 * (1 + F.cos(F.pi() * (n - 200) / 300))))
-    return st.episodes(spark, d).select("id", F.round(rate, 9).alias("rate"))
+    return st.episodes(spark, d).select("id", F.round(formats.learning_rate(F.col("frames") * 5, 3000), 9).alias("rate"))
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, floor(t / 30)::BIGINT AS part, count(*) AS n, round(avg(value), 6) AS mean FROM s GROUP BY ALL""")
@@ -446,13 +433,19 @@ def latest_fix(spark, d):
 
 @query("SELECT kind, n FROM (SELECT event_type AS kind, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, kind LIMIT 3)")
 def top_places(spark, d):
-    return st.read(spark, d, "events").groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "kind").limit(3)
+    return catalog.top_values(st.read(spark, d, "events").withColumnRenamed("event_type", "kind"), "kind")
 
 
-@query()
+@query(f"""WITH RECURSIVE {st.SENSOR}, o AS (SELECT session, event_id, t, lat AS za, lon AS zb, row_number() OVER (PARTITION BY session ORDER BY t, event_id) AS n FROM s),
+k AS (SELECT session, event_id, n, t, za AS a, zb AS b, 0e0 AS va, 0e0 AS vb, 1e-4::DOUBLE AS p00, 0e0 AS p01, 1e-4::DOUBLE AS p11 FROM o WHERE n = 1
+ UNION ALL SELECT session, event_id, n, t, a + dt * va + g * (za - (a + dt * va)), b + dt * vb + g * (zb - (b + dt * vb)), va + h * (za - (a + dt * va)), vb + h * (zb - (b + dt * vb)), (1 - g) * q00, (1 - g) * q01, q11 - h * q01 FROM (
+  SELECT *, q00 / (q00 + 1e-2::DOUBLE) AS g, q01 / (q00 + 1e-2::DOUBLE) AS h FROM (
+   SELECT o.session, o.event_id, o.n, o.t, za, zb, a, b, va, vb, dt, p00 + 2 * dt * p01 + dt * dt * p11 + 1e-4::DOUBLE * pow(dt, 4) / 4 AS q00, p01 + dt * p11 + 1e-4::DOUBLE * pow(dt, 3) / 2 AS q01, p11 + 1e-4::DOUBLE * dt * dt AS q11
+   FROM (SELECT o.*, a, b, va, vb, p00, p01, p11, CASE WHEN o.t > k.t THEN o.t - k.t ELSE 1e0 END AS dt FROM k JOIN o ON o.session = k.session AND o.n = k.n + 1) o)))
+SELECT session, event_id, round(a, 6) AS lat_smooth, round(b, 6) AS lon_smooth FROM k""")
 def kalman_smooth(spark, d):
-    out = folds.kalman(st.sensor(spark, d).select("session", "event_id", "t", "lat", "lon"), ["lat", "lon"])
-    return out.select("session", "event_id", *(F.round(c, 9).alias(c) for c in ("lat_smooth", "lon_smooth")))
+    out = folds.kalman(st.sensor(spark, d).select("session", "event_id", "t", "lat", "lon"), ["lat", "lon"], tie="event_id")
+    return out.select("session", "event_id", *r6("lat_smooth", "lon_smooth"))
 
 
 @query()
@@ -460,10 +453,18 @@ def merge_short_segments(spark, d):
     return folds.merge_short(series.hysteresis(st.frames(spark, d)))
 
 
-@query()
+@query(f"""WITH RECURSIVE {st.SENSOR}, r AS (SELECT session, event_id, row_number() OVER (PARTITION BY session ORDER BY t, event_id) AS n, value / 100 AS gx, speed / 10 AS gy, magnitude AS gz FROM s),
+o AS (SELECT *, sqrt(gx * gx + gy * gy + gz * gz) AS w FROM r),
+p AS (SELECT session, event_id, n, w * 1e-2 > 1e-10 AS turned, CASE WHEN w > 0 THEN gx * sin(w * 5e-3) / w END AS a, CASE WHEN w > 0 THEN gy * sin(w * 5e-3) / w END AS b, CASE WHEN w > 0 THEN gz * sin(w * 5e-3) / w END AS c, cos(w * 5e-3) AS d FROM o),
+k AS (SELECT session, 0::BIGINT AS event_id, 0::BIGINT AS n, 0e0 AS x, 0e0 AS y, 0e0 AS z, 1e0 AS w FROM p WHERE n = 1
+ UNION ALL SELECT session, event_id, n, CASE WHEN turned THEN x2 / sqrt(x2 * x2 + y2 * y2 + z2 * z2 + w2 * w2) ELSE x END, CASE WHEN turned THEN y2 / sqrt(x2 * x2 + y2 * y2 + z2 * z2 + w2 * w2) ELSE y END,
+  CASE WHEN turned THEN z2 / sqrt(x2 * x2 + y2 * y2 + z2 * z2 + w2 * w2) ELSE z END, CASE WHEN turned THEN w2 / sqrt(x2 * x2 + y2 * y2 + z2 * z2 + w2 * w2) ELSE w END FROM (
+   SELECT p.session, p.event_id, p.n, turned, x, y, z, w, w * a + x * d + y * c - z * b AS x2, w * b - x * c + y * d + z * a AS y2, w * c + x * b - y * a + z * d AS z2, w * d - x * a - y * b - z * c AS w2
+   FROM k JOIN p ON p.session = k.session AND p.n = k.n + 1))
+SELECT session, event_id, round(x, 6) AS qx, round(y, 6) AS qy, round(z, 6) AS qz, round(w, 6) AS qw FROM k WHERE n > 0""")
 def quaternion_integrate(spark, d):
     s = st.sensor(spark, d).select("session", "event_id", "t", (F.col("value") / 100).alias("gx"), (F.col("speed") / 10).alias("gy"), F.col("magnitude").alias("gz"))
-    return folds.orientation(s).select("session", "event_id", "qx", "qy", "qz", "qw")
+    return folds.orientation(s, tie="event_id").select("session", "event_id", *r6("qx", "qy", "qz", "qw"))
 
 
 @query()
@@ -475,14 +476,23 @@ def gravity_highpass(spark, d):
 def audio_resample(spark, d):
     f = st.frames(spark, d)
     pcm = f.groupBy("session").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")).withColumn("rate", F.lit(48_000))
-    return folds.resample_audio(pcm, 16_000).select("session", "rate", F.size("samples").alias("n"))
+    out = folds.resample_audio(pcm, 16_000)
+    return out.select("session", "rate", F.posexplode("samples").alias("place", "sample")).withColumn("sample", F.round("sample", 6))
 
 
-@query()
+_FEATURES = ", ".join(f'"{k.replace(".", "_")}":"{v}"' for k, v in writers.FEATURES.items()).replace(", ", ",")
+
+
+@query(f"""WITH {st.EPISODES} SELECT '{{"total_episodes":' || count(*) || ',"total_frames":' || sum(frames) || ',"languages":["' || (SELECT string_agg(p, '","' ORDER BY p) FROM (SELECT DISTINCT substr(scenario, 1, 2) AS p FROM e)) ||
+ '"],"fps":30.0,"features":{{{_FEATURES}}}}}' AS info FROM e""")
 def dataset_info(spark, d):
     return writers.dataset_info(st.episodes(spark, d).withColumn("instruction", F.col("scenario")))
 
 
-@query()
+_INSTRUCTION = f"CASE WHEN length(said) > 3 THEN said ELSE {_TEMPLATE(0)} END"
+
+
+@query(_LABELS + f""" SELECT doc_id, '{{"score":' || round(0.4 * action_conf + 0.3 * motion_conf + 0.15, 2)::VARCHAR || ',"result":[{{"from_name":"action_type","type":"choices","value":"' || action_type || '"}},{{"from_name":"scenario","type":"choices","value":"' || scenario ||
+ '"}},{{"from_name":"instruction_hi","type":"textarea","value":' || to_json({_INSTRUCTION})::VARCHAR || '}}]}}' AS prediction FROM x""")
 def prediction_json(spark, d):
     return labeling.predictions(labeling.auto_label(_segments(spark, d), "general")).select("doc_id", "prediction")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import io
+import math
 import struct
 import wave
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 IMU = "timestamp double, accel_x double, accel_y double, accel_z double, gyro_x double, gyro_y double, gyro_z double"
@@ -54,6 +55,29 @@ def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SESSION).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "metadata.json").json(path)
 
 
+def find_session(spark: SparkSession, path: str, session_id: str) -> DataFrame:
+    """The metadata of one session below a folder; none is an empty result."""
+    return read_sessions(spark, path).filter(F.col("session_id") == session_id)
+
+
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """A processed series that ``writers.write_processed`` wrote."""
+    return spark.read.parquet(path)
+
+
+def read_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """Labelling tasks with their annotations, as exported in JSON arrays or lines; the results stay JSON texts."""
+    note = "struct<was_cancelled:boolean,result:string,completed_by:string,created_at:string>"
+    data = "struct<session_id:string,frame_index:long,segment_index:long,start_frame:long,end_frame:long>"
+    return spark.read.schema(f"id long, data {data}, annotations array<{note}>").option("multiLine", True).json(path)
+
+
+def read_damaged(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Episode descriptions in JSON with ``path`` and ``open_error``, which names what can't be parsed, for validation.errors."""
+    df = spark.read.schema(f"{schema}, _damaged string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_damaged").json(path)
+    return df.withColumns({"path": F.col("_metadata.file_path"), "open_error": F.when(F.col("_damaged").isNotNull(), F.lit("cannot be parsed"))}).drop("_damaged")
+
+
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON documents; damaged ones and missing files are skipped."""
     df = spark.read.schema(f"{schema}, _damaged string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_damaged").option("ignoreMissingFiles", True).json(path)
@@ -99,6 +123,16 @@ def read_wav(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, rate int, samples array<float>")
 
 
+def read_frame_times(spark: SparkSession, path: str | None, frames: int = 0, fps: float = 30.0, start: float = 0.0) -> DataFrame:
+    """Frame times of a CSV (frame_index, timestamp), without one as ``frame_times``."""
+    if path is None:
+        return frame_times(spark, frames, fps, start)
+    rows = require(_numbers(spark, path), ["timestamp"])
+    if "frame_index" not in rows.columns:
+        raise ValueError("missing columns: frame_index")
+    return rows.select(F.col("frame_index").cast("long"), "timestamp").orderBy("frame_index")
+
+
 def frame_times(spark: SparkSession, frames: int, fps: float, start: float = 0.0) -> DataFrame:
     """frame_index and timestamp start + i / fps; no frames is an error."""
     if frames <= 0:
@@ -128,6 +162,31 @@ def raw_imu(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c) / 16384.0 * 9.81 for c in ("accel_x", "accel_y", "accel_z")} | {c: F.radians(F.col(c) / 131.0) for c in ("gyro_x", "gyro_y", "gyro_z")})
 
 
+def synthetic_imu(spark: SparkSession, sessions: int, rows: int, rate: float = 100.0, seed: int = 1, start: float = 1_700_000_000.0) -> DataFrame:
+    """(session_id, timestamp, six channels) of sensors at rest with noise, the same for the same seed and partitions."""
+    noise = lambda k, mean, size: mean + F.randn(seed + k) * size
+    at = F.lit(start) + (F.col("id") % rows) / F.lit(rate)
+    name = F.format_string("session_%04d", F.floor(F.col("id") / rows))
+    return spark.range(sessions * rows).select(
+        name.alias("session_id"), at.alias("timestamp"), noise(0, 0.0, 0.3).alias("accel_x"), noise(1, 0.0, 0.3).alias("accel_y"), noise(2, 9.81, 0.1).alias("accel_z"),
+        *(noise(3 + k, 0.0, 0.05).alias(c) for k, c in enumerate(("gyro_x", "gyro_y", "gyro_z"))),
+    )
+
+
+def synthetic_gps(spark: SparkSession, sessions: int, rows: int, seed: int = 1, start: float = 1_700_000_000.0, lat: float = 12.97, lon: float = 77.59) -> DataFrame:
+    """(session_id, timestamp, lat, lon, speed_kmh, heading) of random walks at one fix a second: the heading changes by
+    5 degrees and the speed by 2 km/h (never below 0) of deviation each."""
+    base = spark.range(sessions * rows).select(F.format_string("session_%04d", F.floor(F.col("id") / rows)).alias("session_id"), (F.col("id") % rows).alias("_k"), F.randn(seed).alias("_h"), F.randn(seed + 1).alias("_v"))
+    w = Window.partitionBy("session_id").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    heading = F.pmod(F.sum(F.col("_h") * 5).over(w) + 360, F.lit(360.0))
+    # a walk that never goes below 0 is the free walk less its lowest point so far
+    free = base.withColumn("_free", F.lit(10.0) + F.sum(F.col("_v") * 2).over(w)).withColumn("heading", heading)
+    moved = free.withColumn("speed_kmh", F.col("_free") - F.least(F.lit(0.0), F.min("_free").over(w)))
+    step = F.col("speed_kmh") / 3.6 / 111_320.0
+    north, east = F.sum(step * F.cos(F.radians("heading"))).over(w), F.sum(step * F.sin(F.radians("heading"))).over(w) / math.cos(math.radians(lat))
+    return moved.select("session_id", (F.lit(start) + F.col("_k")).alias("timestamp"), (F.lit(lat) + north).alias("lat"), (F.lit(lon) + east).alias("lon"), "speed_kmh", "heading")
+
+
 def decode_video(df: DataFrame, decoder=None) -> DataFrame:
     """Frames of binary videos through an injected Arrow function; none is part of this package."""
     if decoder is None:
