@@ -232,6 +232,34 @@ def test_jaccard(spark, hot, pairs):
     assert got["component_id"].tolist() == want and got["n_shingles"].tolist() == sizes
 
 
+def test_jaccard_links_and_grid(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    base = [[f"w{x}" for x in rng.integers(0, 5000, 30)] for _ in range(3)]
+    texts = [None, "", "a b"]
+    for k in range(120):
+        w = list(base[k % 3]) + [f"tail{x}" for x in rng.integers(0, 3, 2)]
+        for _ in range(rng.integers(0, 3)):
+            w[rng.integers(0, len(w))] = f"x{rng.integers(0, 9)}"
+        texts.append(" ".join(w))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").split() for t in texts)]
+    same = lambda x, y: bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
+    want = [sum(same(sets[i], sets[j]) for j in range(len(texts)) if j != i) for i in range(len(texts))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    small = jaccard._candidates
+    monkeypatch.setattr(jaccard, "_candidates", lambda tokens, lists, nodes, percent: small(tokens, lists, nodes, percent, group=5, block=4))
+    members, links = jaccard.jaccard_join(df)
+    got = members.toPandas().sort_values("doc_id")
+    assert got["n_links"].tolist() == want and got["n_shingles"].tolist() == [len(x) for x in sets]
+    pairs = {(r["a"], r["b"]) for r in links.collect()}
+    first = {}
+    for k, t in enumerate(texts):
+        first.setdefault(t, k)
+    names = sorted(k for t, k in first.items() if t)
+    assert pairs == {(i, j) for i in names for j in names if i < j and same(sets[i], sets[j])}
+    components, _ = _components(texts)
+    assert jaccard.jaccard_components(df, pairs_per_posting=1e9).orderBy("doc_id").toPandas()["component_id"].tolist() == components
+
+
 def test_jaccard_bitmap_bound():
     rng = np.random.default_rng(3)
     maps, sets = [], []

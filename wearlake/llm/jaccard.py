@@ -3,10 +3,11 @@
 Texts become sets of word shingles.  Rows with the same word sequence are one
 node from the start (its 64-bit signature), so copies cost nothing later.
 
-1. Shingle postings go to hash buckets as packed arrays.  A bucket counts how
-   many nodes have each shingle; shingles of a single node can't be shared and
-   stop there.  A shingle that is frequent within one map task's batch is
-   spread over salted buckets and ranked last, everywhere.
+1. Shingle postings go to hash buckets as packed arrays, and with them each
+   row's id, node and set size, so that texts are cut into shingles once.  A
+   bucket counts how many nodes have each shingle; shingles of a single node
+   can't be shared and stop there.  A shingle that is frequent within one map
+   task's batch is spread over salted buckets and ranked last, everywhere.
 2. A node's shingles are ordered rarest first.  By the prefix principle two
    sets with |x & y| >= a share at least l of the first |x| - a + l of each.
    Every node picks the l that makes its prefix's scan cost plus estimated
@@ -18,11 +19,14 @@ node from the start (its 64-bit signature), so copies cost nothing later.
    proportion to the postings.  Then all pairs of different components that
    share enough prefix shingles and whose bitmaps of shingle parities are close
    enough are verified, so no link between components is lost; links inside a
-   component can't change it.
+   component can't change it.  ``jaccard_join`` leaves the star rounds out and
+   gives all links.
 
-Sets are compared by 64-bit shingle hashes less a few bits (48 and the
-bucket's); equal hashes count as equal shingles, equal signatures as equal
-word sequences.
+A long posting list is dealt to a grid of node blocks and a leader's many lists
+to parts, so that no list is one task.
+
+Sets are compared by whole 64-bit shingle hashes; equal hashes count as equal
+shingles, equal signatures (63 bits) as equal word sequences.
 """
 
 from __future__ import annotations
@@ -35,9 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import connected_components, materialise, release
+from wearlake.llm.runtime import connected_components, discard, materialise, release
 
-_LOW = np.uint64((1 << 48) - 1)
+#: Kinds of rows of the postings.
+_PLAIN, _OFTEN, _TOLD, _ROWS = 0, 1, 2, 3
+#: A bucket is the top bits of a shingle, at least 8 of them; postings hold the other 56.
+_LEAST_BUCKETS = 256
 #: Rank of a shingle that some map task found frequent.
 HOT = (1 << 31) - 1
 _SALTS = 16
@@ -62,109 +69,105 @@ def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np
     return signature, shingles, begin
 
 
-def document_nodes(docs: DataFrame, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node, n_shingles) of every row; node is null for a text without words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for _, _, data, offsets in tv.blocks(batch.column(1)):
-                signature, _, begin = _sets(data, offsets, n)
-                nodes.append(signature)
-                sizes.append(np.diff(begin))
-            size = np.concatenate(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(nodes), mask=size == 0), pa.array(size)], ["id", "node", "n_shingles"])
-        tv.trim()
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, node long, n_shingles long")
-
-
 def _binary(arrays: list[np.ndarray]) -> pa.Array:
     return pa.array([x.tobytes() for x in arrays], pa.binary())
 
 
-def _postings(docs: DataFrame, n: int, buckets: int, hot: int, text_col: str, flush_at: int = 1_500_000) -> DataFrame:
-    """(bucket, hot, nodes, sizes, counts, low, high) rows: runs of a node's shingles in a bucket.
+def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text_col: str, flush_at: int = 1_500_000) -> DataFrame:
+    """(bucket, kind, nodes, sizes, counts, low, mid, high) rows: runs of a node's shingles in a bucket.
 
-    The bucket is the top bits of a shingle, low and high its last 48.  Rows
-    with hot = 1 are a salted bucket of frequent shingles; hot = 2 tells a
-    bucket which of its shingles are frequent elsewhere.
+    low, mid and high are a shingle's last 56 bits.  Rows of kind _OFTEN are a
+    salted bucket of frequent shingles, _TOLD tells a bucket which of its
+    shingles are frequent elsewhere, and _ROWS has nodes, set sizes, which ids
+    are null (counts) and ids (low) of a block of documents.
     """
     shift = np.uint64(64 - (buckets.bit_length() - 1))
+    names = ["bucket", "kind", "nodes", "sizes", "counts", "low", "mid", "high"]
 
     def pack(shingles: np.ndarray, owner: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, key: np.ndarray, kind: int) -> pa.RecordBatch:
         order = np.argsort(key, kind="stable")
         shingles, owner, key = shingles[order], owner[order], key[order]
         cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         stop = np.append(cut[1:], len(key))
-        columns: list[list[np.ndarray]] = [[], [], [], [], []]
+        columns: list[list[np.ndarray]] = [[], [], [], [], [], []]
         for a, b in zip(cut.tolist(), stop.tolist()):
-            own = owner[a:b]
+            own, value = owner[a:b], shingles[a:b]
             run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            low = shingles[a:b] & _LOW
-            for column, x in zip(columns, (nodes[own[run]], sizes[own[run]].astype(np.int32), np.diff(np.append(run, b - a)).astype(np.int32), low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint16))):
+            parts = (nodes[own[run]], sizes[own[run]].astype(np.int32), np.diff(np.append(run, b - a)).astype(np.int32))
+            parts += (value.astype(np.uint32), (value >> np.uint64(32)).astype(np.uint16), (value >> np.uint64(48)).astype(np.uint8))
+            for column, x in zip(columns, parts):
                 column.append(x)
-        names = ["bucket", "hot", "nodes", "sizes", "counts", "low", "high"]
         return pa.RecordBatch.from_arrays([pa.array(key[cut].astype(np.int64)), pa.array(np.full(len(cut), kind, np.int32)), *map(_binary, columns)], names)
 
     def flush(held: list, salt: int) -> Iterator[pa.RecordBatch]:
         nodes, sizes = np.concatenate([x[0] for x in held]), np.concatenate([x[2] for x in held])
         shingles = np.concatenate([x[1] for x in held])
         owner = np.repeat(np.arange(len(nodes)), sizes)
-        key = (shingles >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(shingles), np.int64)
+        key = (shingles >> shift).astype(np.int64)
         ordered = np.sort(shingles)
         often = ordered[hot - 1 :][ordered[hot - 1 :] == ordered[: len(ordered) - hot + 1]] if len(ordered) >= hot else ordered[:0]
         often = np.unique(often)
         if len(often):
             slot = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
             frequent = often[slot] == shingles
-            yield pack(shingles[frequent], owner[frequent], nodes, sizes, key[frequent] * _SALTS + salt % _SALTS, 1)
+            yield pack(shingles[frequent], owner[frequent], nodes, sizes, key[frequent] * _SALTS + salt % _SALTS, _OFTEN)
             none = np.zeros(len(often), np.int64)
-            yield pack(often, none, np.zeros(1, np.int64), none[:1], (often >> shift).astype(np.int64) if buckets > 1 else none, 2)
+            yield pack(often, none, np.zeros(1, np.int64), none[:1], (often >> shift).astype(np.int64), _TOLD)
             shingles, owner, key = shingles[~frequent], owner[~frequent], key[~frequent]
         if len(shingles):
-            yield pack(shingles, owner, nodes, sizes, key, 0)
+            yield pack(shingles, owner, nodes, sizes, key, _PLAIN)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held, waiting, seen, salt = [], 0, np.zeros(0, np.int64), TaskContext.get().partitionId()
+        held, waiting, seen, salt = [], 0, set(), TaskContext.get().partitionId()
         for batch in batches:
-            for _, _, data, offsets in tv.blocks(batch.column(0)):
+            ids, null = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            for row, end, data, offsets in tv.blocks(batch.column(1)):
                 node, shingles, begin = _sets(data, offsets, n)
-                _, first = np.unique(node, return_index=True)
+                size = np.diff(begin)
+                whole = [[x] for x in (node, size.astype(np.int32), null[row:end].astype(np.uint8), ids[row:end], node[:0], node[:0])]
+                yield pa.RecordBatch.from_arrays([pa.array([salt % buckets]), pa.array([_ROWS], pa.int32()), *map(_binary, whole)], names)
                 new = np.zeros(len(node), bool)
-                new[first] = True
-                new &= ~np.isin(node, seen) & (np.diff(begin) > 0)
-                seen = np.concatenate((seen, node[new]))
-                held.append((node[new], shingles[np.repeat(new, np.diff(begin))], np.diff(begin)[new]))
+                for k, x in enumerate(node.tolist()):
+                    if size[k] and x not in seen:
+                        seen.add(x)
+                        new[k] = True
+                held.append((node[new], shingles[np.repeat(new, size)], size[new]))
                 waiting += len(held[-1][1])
                 if waiting >= flush_at:
                     yield from flush(held, salt)
-                    held, waiting, salt = [], 0, salt + 1
+                    held, waiting = [], 0
+                salt += 1
         if waiting:
             yield from flush(held, salt)
         tv.trim()
 
-    return docs.select(text_col).mapInArrow(run, "bucket long, hot int, nodes binary, sizes binary, counts binary, low binary, high binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "bucket long, kind int, nodes binary, sizes binary, counts binary, low binary, mid binary, high binary")
 
 
 def _shared(postings: DataFrame, buckets: int) -> DataFrame:
-    """(place, nodes, sizes, counts, shingles, ranks): the shingles that several nodes have, packed for the buckets of nodes."""
+    """(place, nodes, sizes, counts, shingles, ranks): the shingles that several nodes have, packed for the buckets of nodes;
+    rows of documents go on with a negative place, their ids as shingles."""
     bits = buckets.bit_length() - 1
 
     def run(table: pa.Table) -> pa.Table:
-        key, kind = table.column("bucket")[0].as_py(), table.column("hot").to_numpy()
-        salted = bool((kind == 1).any())
-        bucket = np.uint64(key // _SALTS if salted else key)
+        key, kind = table.column("bucket")[0].as_py(), table.column("kind").to_numpy()
+        if kind[0] == _ROWS:
+            empty = pa.array([b""] * len(table), pa.binary())
+            return pa.table([pa.array(np.full(len(table), -1 - key)), *(table.column(c).combine_chunks() for c in ("nodes", "sizes", "counts", "low")), empty], names=["place", "nodes", "sizes", "counts", "shingles", "ranks"])
+        salted = bool(kind[0] == _OFTEN)
+        top = np.uint64((key // _SALTS if salted else key) >> (bits - 8)) << np.uint64(56)
         read = lambda name, dtype, rows: [np.frombuffer(x.as_py(), dtype) for x, r in zip(table.column(name), rows) if r]
         join = lambda parts, dtype: np.concatenate(parts) if parts else np.zeros(0, dtype)
 
         def shingles(rows: np.ndarray) -> np.ndarray:
-            value = join(read("low", np.uint32, rows), np.uint32).astype(np.uint64) | join(read("high", np.uint16, rows), np.uint16).astype(np.uint64) << np.uint64(32)
-            return value | (bucket << np.uint64(48) if bits <= 16 else np.uint64(0))
+            value = join(read("low", np.uint32, rows), np.uint32).astype(np.uint64) | top
+            value |= join(read("mid", np.uint16, rows), np.uint16).astype(np.uint64) << np.uint64(32)
+            return value | join(read("high", np.uint8, rows), np.uint8).astype(np.uint64) << np.uint64(48)
 
-        own = kind != 2
+        own = kind != _TOLD
         value, told = shingles(own), np.unique(shingles(~own))
         node, size, count = (join(read(name, t, own), t) for name, t in (("nodes", np.int64), ("sizes", np.int32), ("counts", np.int32)))
         node, size = np.repeat(node, count), np.repeat(size, count)
@@ -173,7 +176,7 @@ def _shared(postings: DataFrame, buckets: int) -> DataFrame:
         keep = np.ones(len(value), bool)
         keep[1:] = (value[1:] != value[:-1]) | (node[1:] != node[:-1])  # another task had the same text
         value, node, size = value[keep], node[keep], size[keep]
-        _, at, df = np.unique(value, return_index=True, return_counts=True)
+        _, df = np.unique(value, return_counts=True)
         rank = np.repeat(df, df)
         if salted:
             rank[:] = HOT
@@ -194,7 +197,8 @@ def _shared(postings: DataFrame, buckets: int) -> DataFrame:
                 column.append(x)
         return pa.table([pa.array(place[cut]), *map(_binary, columns)], names=["place", "nodes", "sizes", "counts", "shingles", "ranks"])
 
-    return postings.groupBy("bucket", F.expr("hot = 1").alias("salted")).applyInArrow(run, "place long, nodes binary, sizes binary, counts binary, shingles binary, ranks binary")
+    group = F.expr(f"case when kind in ({_OFTEN}, {_ROWS}) then kind else {_PLAIN} end")
+    return postings.groupBy("bucket", group.alias("group")).applyInArrow(run, "place long, nodes binary, sizes binary, counts binary, shingles binary, ranks binary")
 
 
 def prefix_choice(size: int, alone: int, rank: np.ndarray, percent: int, most: int = 4) -> tuple[int, int]:
@@ -217,12 +221,19 @@ def prefix_choice(size: int, alone: int, rank: np.ndarray, percent: int, most: i
 
 
 def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
-    """(node, size, l, prefix, shingles) of every node with a prefix that others may share; shingles: all shared ones, ascending."""
+    """(id, node, size, l, prefix, shingles): every node with a prefix that others may share (shingles: all shared ones,
+    ascending), and, with l = 0, every document (node null for a text without words)."""
+    names = ["id", "node", "size", "l", "prefix", "shingles"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
 
     def run(table: pa.Table) -> pa.Table:
         read = lambda name, dtype: np.concatenate([np.frombuffer(x.as_py(), dtype) for x in table.column(name)])
-        node, size, count = read("nodes", np.int64), read("sizes", np.int32), read("counts", np.int32)
-        value, rank = read("shingles", np.uint64), read("ranks", np.int32)
+        node, size = read("nodes", np.int64), read("sizes", np.int32)
+        if table.column("place")[0].as_py() < 0:
+            none = pa.nulls(len(node), kinds[4])
+            columns = [pa.array(read("shingles", np.int64), mask=read("counts", np.uint8) > 0), pa.array(node, mask=size == 0), pa.array(size), pa.array(np.zeros(len(node), np.int32)), none, pa.nulls(len(node), kinds[5])]
+            return pa.table(columns, names=names)
+        count, value, rank = read("counts", np.int32), read("shingles", np.uint64), read("ranks", np.int32)
         node, size = np.repeat(node, count), np.repeat(size, count)
         order = np.lexsort((value, rank, node))
         node, size, value, rank = node[order], size[order], value[order], rank[order]
@@ -234,11 +245,10 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(node)).tolist()):
             l, length = prefix_choice(int(size[a]), int(size[a]) - (b - a), rank[a:b].astype(np.int64), percent)
             if length:
-                rows.append((int(node[a]), int(size[a]), l, value[a : a + length].view(np.int64), np.sort(value[a:b]).tobytes()))
-        names, kinds = ["node", "size", "l", "prefix", "shingles"], [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
+                rows.append((None, int(node[a]), int(size[a]), l, value[a : a + length].view(np.int64), np.sort(value[a:b]).tobytes()))
         return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    return shared.groupBy("place").applyInArrow(run, "node long, size int, l int, prefix array<long>, shingles binary")
+    return shared.groupBy("place").applyInArrow(run, "id long, node long, size int, l int, prefix array<long>, shingles binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -292,7 +302,7 @@ def differing(maps: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     return out
 
 
-def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 100_000) -> DataFrame:
+def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 600, block: int = 1024) -> DataFrame:
     """All pairs of different components that share enough prefix shingles and whose sizes and bitmaps allow a link.
 
     |a & b| is at most the number of shingles that either node shares with any
@@ -301,19 +311,28 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
     that would not do.
 
     Lists with the same leader mostly hold the same nodes, so they are counted
-    together, in groups of about ``group`` postings: a pair is emitted once per
-    group, not once per shared shingle.
+    together, in parts of about ``group`` postings: a pair is emitted once per
+    part, not once per shared shingle.  A list of over 2 * ``block`` nodes is
+    dealt to the cells of a grid of blocks of about ``block`` nodes instead; a
+    cell has the pairs of one block with another or with itself.
     """
-    totals = lists.groupBy(F.col("x.node").alias("leader")).agg(F.ceil(F.sum("n") / group).alias("parts"))
-    dealt = lists.select("token", F.col("x.node").alias("leader")).join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
+    long = lists.filter(F.col("n") > 2 * block).select("token", F.ceil(F.col("n") / block).cast("long").alias("b"))
+    short = lists.filter(F.col("n") <= 2 * block).select("token", F.col("x.node").alias("leader"), "n")
+    totals = short.groupBy("leader").agg(F.ceil(F.sum("n") / group).alias("parts"))
+    dealt = short.join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
+    fields = ("token", "node", "size", "l", "shared", "comp")
+    plain = tokens.join(dealt, "token").select("leader", "part", *fields, F.lit(0).alias("side"))
+    own = F.pmod(F.xxhash64("node"), F.col("b"))
+    cell = F.transform(F.sequence(F.lit(0).cast("long"), F.col("b") - 1), lambda k: F.struct((-1 - (F.least(own, k) * F.col("b") + F.greatest(own, k))).alias("part"), F.when(own < k, 1).when(own > k, 2).otherwise(0).alias("side")))
+    grid = tokens.join(long, "token").select(*fields, F.explode(cell).alias("cell")).select(F.col("token").alias("leader"), "cell.part", *fields, "cell.side")
 
     def run(table: pa.Table, parity: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
         order = np.argsort(get("token"), kind="stable")
-        token, size, l, comp, shared = (get(c)[order] for c in ("token", "size", "l", "comp", "shared"))
+        token, size, l, comp, shared, side = (get(c)[order] for c in ("token", "size", "l", "comp", "shared", "side"))
         name, vertex = np.unique(get("node")[order], return_inverse=True)
         _, at = np.unique(vertex, return_index=True)
-        v_size, v_l, v_comp, v_shared = size[at].astype(np.int64), l[at], comp[at], shared[at].astype(np.int64)
+        v_size, v_l, v_comp, v_shared, v_side = size[at].astype(np.int64), l[at], comp[at], shared[at].astype(np.int64), side[at]
         maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in parity.column("bits").take(np.argsort(parity.column("member").to_numpy()))]
         cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
         key, count, held, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
@@ -334,6 +353,7 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
             for k in range(0, len(own), 512):  # a long list in strips
                 left, right = own[k : k + 512, None], own[None, k:]
                 fits = (left < right) & (v_comp[left] != v_comp[right]) & ((100 + percent) * np.minimum(v_shared[left], v_shared[right]) >= percent * (v_size[left] + v_size[right]))
+                fits &= (v_side[left] == 0) | (v_side[left] != v_side[right])  # of two blocks only pairs of one with the other
                 i, j = np.nonzero(fits)
                 held.append(own[k : k + 512][i].astype(np.int64) << 32 | own[k:][j])
                 waiting += len(i)
@@ -344,15 +364,16 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
         columns = [pa.array(name[i]), pa.array(name[j]), pa.array(v_comp[i]), pa.array(v_comp[j]), pa.array(count), pa.array(np.minimum(v_l[i], v_l[j]).astype(np.int32))]
         return pa.table(columns, names=["a", "b", "a_comp", "b_comp", "n", "l"])
 
-    members = tokens.join(dealt, "token").select("leader", "part", "token", "node", "size", "l", "shared", "comp")
+    members = plain.unionByName(grid)
     parity = members.select("leader", "part", "node").distinct().join(_bitmaps(sets), "node")
     parity = parity.select(F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("node").alias("member"), "bits")
     groups = members.groupBy("leader", "part").cogroup(parity.groupBy("of", "of_part")).applyInArrow(run, "a long, b long, a_comp long, b_comp long, n long, l int")
     return groups.groupBy("a", "b", "a_comp", "b_comp").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l")
 
 
-def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4) -> DataFrame:
-    """Links (a, b) that give the components of the full join over the nodes of ``sets``.
+def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4) -> list[DataFrame]:
+    """Written tables of links (a, b) that together give the components of the full join over the nodes of ``sets``;
+    without ``rounds`` all its links.
 
     Star rounds go on, ``rounds`` at most, while the pairs left in posting lists
     would be more than ``pairs_per_posting`` times the postings.  In a round
@@ -365,7 +386,7 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
     """
     shared = F.expr("cast(octet_length(shingles) div 8 as int)")
     tokens = sets.select("node", "size", "l", shared.alias("shared"), F.col("node").alias("comp"), F.explode("prefix").alias("token"))
-    found = []
+    found, kept, merged = [], None, None
     for turn in range(rounds + 1):
         # another member of a component leads in each round, the same one in most lists of a group
         draw = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
@@ -374,12 +395,14 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
         x, y = (F.col("low"), F.col("high")) if turn else (F.col("close"), F.when(F.col("close.comp") < F.col("high.comp"), F.col("high")).otherwise(F.col("low")))
         lists = materialise(lists.filter("low.comp < high.comp").select("token", "n", x.alias("x"), y.alias("y")), "lists")
         todo = lists.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if not todo[0]:
-            break
-        if turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
+        if todo[0] and (turn == rounds or todo[1] <= pairs_per_posting * todo[0]):
             found.append(materialise(_verified(_candidates(tokens, lists, sets, percent), sets, percent), "links"))
+        if not todo[0] or turn == rounds or todo[1] <= pairs_per_posting * todo[0]:
+            discard(lists, kept, merged)
             break
-        kept = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
+        now = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
+        discard(lists, kept, merged)
+        kept = now
         votes = kept.select("node", "size", "shared", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
         votes = votes.filter(F.least("shared", "to.shared") * (100 + percent) >= (F.col("size") + F.col("to.size")) * percent)
         votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(F.max(F.struct("n", "to")).alias("best"))
@@ -389,17 +412,26 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
             F.when(node < to, F.col("comp")).otherwise(F.col("best.to.comp")).alias("a_comp"), F.when(node < to, F.col("best.to.comp")).otherwise(F.col("comp")).alias("b_comp"),
         ).distinct()
         found.append(materialise(_verified(pairs, sets, percent), "links"))
-        merged = connected_components(found[-1], "a_comp", "b_comp").filter("node <> component")
-        later = merged.select(F.col("node").alias("comp"), F.col("component").alias("to_comp"))
+        merged = connected_components(found[-1], "a_comp", "b_comp")
+        later = merged.filter("node <> component").select(F.col("node").alias("comp"), F.col("component").alias("to_comp"))
         tokens = kept.join(later, "comp", "left").select("node", "size", "l", "shared", F.coalesce("to_comp", "comp").alias("comp"), "token")
         release(spark)
-    out = spark.createDataFrame([], "a long, b long")
-    for links in found:
-        out = out.union(links.select("a", "b"))
-    return out
+    return found
+
+
+def _written_sets(docs: DataFrame, n: int, percent: int, hot: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables: sets (node, size, l, prefix, shingles) and documents (id, node, n_shingles); the first holds both, to be discarded."""
+    spark = docs.sparkSession
+    buckets = _LEAST_BUCKETS
+    while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
+        buckets *= 2
+    both = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, id_col, text_col), buckets), percent), "sets")
+    nodes = materialise(both.filter("l = 0").select("id", "node", F.col("size").cast("long").alias("n_shingles")), "nodes")
+    release(spark)
+    return both, both.filter("l > 0").drop("id"), nodes
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 
     Words are lower-cased (A-Z); a set holds the distinct n-word shingles, with
@@ -407,21 +439,48 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int
     an empty set, links with nothing and is its own component.  Two documents
     link when 100 * |x & y| >= percent * |x | y|; component_id is the smallest
     id reachable by links, itself included (null ids are left out of the
-    smallest).  Repeated rows are kept; other columns are left out; an empty
-    table gives an empty result.
+    smallest).  Ids are long integers.  Repeated rows are kept; other columns
+    are left out; an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    buckets = 128
-    while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
-        buckets *= 2
-    sets = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, text_col), buckets), percent), "sets")
-    release(spark)
-    links = jaccard_links(spark, sets, percent, pairs_per_posting=pairs_per_posting)
-    parts = materialise(connected_components(links), "components")
-    nodes = materialise(document_nodes(docs, n, id_col, text_col), "nodes")
+    both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
+    found = jaccard_links(spark, sets, percent, rounds, pairs_per_posting)
+    parts = connected_components(_all_links(spark, found))
+    discard(both, *found)
     classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
     classes = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(smallest, "component").select(F.col("node").alias("c_node"), "component_id")
     rows = nodes.join(named, nodes.node == named.c_node, "left")
     return rows.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+
+
+def _all_links(spark: SparkSession, found: list[DataFrame]) -> DataFrame:
+    out = spark.createDataFrame([], "a long, b long")
+    for links in found:
+        out = out.union(links.select("a", "b"))
+    return out
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links of the join of ``jaccard_components``, none left out: (members, links).
+
+    members has one row per document: id, n_shingles, class_id (the smallest id
+    with the same words; null without words), n_links (documents linked with it,
+    those with the same words included).  links has the pairs (a, b) of class
+    ids whose sets link, a < b.  Classes whose ids are all null have no name
+    and no links here.
+    """
+    spark = docs.sparkSession
+    both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
+    found = jaccard_links(spark, sets, percent, 0)
+    pairs = _all_links(spark, found).distinct()
+    named = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
+    side = lambda c: named.select(F.col("node").alias(c), F.col("class_id").alias(f"{c}_class"), F.col("copies").alias(f"{c}_copies"))
+    links = materialise(pairs.join(side("a"), "a").join(side("b"), "b").filter("a_class is not null and b_class is not null"), "class-links")
+    discard(both, *found)
+    ends = links.select(F.col("a").alias("node"), F.col("b_copies").alias("n")).union(links.select("b", "a_copies"))
+    others = ends.groupBy("node").agg(F.sum("n").alias("others"))
+    counted = named.join(others, "node", "left").select(F.col("node").alias("c_node"), "class_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    members = nodes.join(counted, nodes.node == counted.c_node, "left").select(F.col("id").alias(id_col), "n_shingles", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return members, links.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b"))

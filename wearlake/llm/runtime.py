@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local session gets one of its own; a cluster is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = current.get() if current.isDefined() else None
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="wearlake-")
         spark.sparkContext.setCheckpointDir(path)
     return path
@@ -36,23 +41,26 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table written by ``materialise`` that nothing reads any more."""
-    path = getattr(df, "wearlake_path", None)
-    if path:
-        jvm = df.sparkSession.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables written by ``materialise`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "wearlake_path", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of tables that are written and no longer referred to."""
+    """Let Spark delete the shuffle files of tables that are written and no longer referred to, where the session has its JVM at hand."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) of every node of an undirected edge list; a component is named by its smallest node.
+    """(node, component) of every node of an undirected edge list, written; a component is named by its smallest node.
 
     Large-star and small-star rounds in turn, until every edge leads from a node
     to the one root it has.  Each round is a partial aggregation and an
@@ -84,4 +92,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         links, written, loops = now, now, False
     ends = nodes.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     labels = (links.filter("u <> v") if loops else links).groupBy("u").agg(F.min("v").alias("m"))
-    return ends.join(labels, ends.node == labels.u, "left").select("node", F.coalesce("m", "node").alias("component"))
+    found = materialise(ends.join(labels, ends.node == labels.u, "left").select("node", F.coalesce("m", "node").alias("component")), "components")
+    discard(nodes, written)
+    return found
