@@ -310,6 +310,11 @@ def test_quotes_against_sql(spark):
     df = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string")
     got = quotes.link_quotations(df.selectExpr("*", "1 AS key", "2 AS own", "3 AS passages")).toPandas()
     assert rows(got) == rows(duck(quotes.SQL, conversations=df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"})))
+    first = got[got.conv_id == 1].sort_values("reply_rank")
+    assert first["turn"].tolist() == [0, 1, 3, 4] and first["reply_rank"].tolist() == [0, 1, 2, 3]
+    parts = quotes.assembled(quotes.link_quotations(df), 3).toPandas()
+    own = parts[parts.conv_id == 1].sort_values("part")["messages"].tolist()
+    assert [[m["turn"] for m in p] for p in own] == [[0, 1, 3], [4]] and parts["messages"].map(len).sum() == got["reply_rank"].notna().sum()
     reply = got[(got.conv_id == 1) & (got.turn == 3)].iloc[0]
     assert (reply["parent_turn"], reply["n_linked"], reply["text"]) == (1, 2, "OK")
     assert quotes.link_quotations(df.filter("conv_id = 99")).count() == 0
@@ -350,6 +355,115 @@ def test_quality(spark, docs, empty):
     assert quality.score_quality(docs, quality.fit_quality(d, labels.limit(0))).toPandas()["score"].notna().all()
 
 
+def test_reply_order_of_a_long_conversation(spark):
+    rng = np.random.default_rng(3)
+    rows_ = [(1, int(t), "user", f"message {t}" if t % 3 else f"> message {rng.integers(0, max(1, t))}\nand {t}") for t in range(300)]
+    df = spark.createDataFrame(rows_, "conv_id long, turn long, role string, text string").repartition(4)
+    got = quotes.link_quotations(df).toPandas()
+    assert rows(got) == rows(duck(quotes.SQL, conversations=df.toPandas()))
+    order = got.sort_values("reply_rank")
+    assert order["reply_rank"].tolist() == list(range(300)) and [(p, t) for p, t in zip(order.parent_turn, order.turn)] == sorted(zip(got.parent_turn, got.turn))
+
+
+def _loss(w, theta, text, feature, value, grade, penalty):
+    score = np.bincount(text, value * w[feature], minlength=len(grade))
+    above = np.concatenate((np.ones((len(grade), 1)), 1 / (1 + np.exp(theta[None, :] - score[:, None])), np.zeros((len(grade), 1))), axis=1)
+    at = np.arange(len(grade))
+    return -np.log(above[at, grade] - above[at, grade + 1]).mean() + penalty * (w @ w) / (2 * len(grade))
+
+
+def test_ordinal_fit_is_the_optimum():
+    rng = np.random.default_rng(5)
+    n, features = 200, 6
+    text, feature = np.repeat(np.arange(n), 3), rng.integers(0, features, 3 * n)
+    value = rng.uniform(0.5, 2, 3 * n)
+    score = np.bincount(text, value * np.linspace(-1, 1.5, features)[feature], minlength=n) + rng.logistic(size=n)
+    grade = np.digitize(score, [0.0, 1.0, 2.5])
+    w, theta = toxicity.fit_ordinal(text, feature, value, grade, features, steps=3000)
+    best = _loss(w, theta, text, feature, value, grade, 1.0)
+    for k in range(features + 3):
+        for step in (1e-3, -1e-3):
+            x = np.concatenate((w, theta))
+            x[k] += step
+            assert _loss(x[:features], x[features:], text, feature, value, grade, 1.0) >= best - 1e-9
+
+
+def test_toxicity_scores_by_formula(spark):
+    d, labels = _labelled(spark)
+    model = toxicity.fit_toxicity(d, labels)
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(d, model).collect()}
+    for r in d.collect():
+        words = re.findall(r"[a-z\u0080-\uffff]+", r["text"].lower())
+        counts = Counter()
+        for w in words:
+            raw = np.frombuffer(w.encode(), np.uint8)
+            kinds = [textvec.span_hashes(raw, np.array([0]), np.array([len(raw)]))[0]]
+            kinds += [textvec.mix64(textvec.span_hashes(raw, np.array([0]), np.array([min(k, len(raw))])) ^ np.uint64(k))[0] for k in toxicity.PREFIXES]
+            counts.update(int(x) for x in kinds)
+        place = {int(k): i for i, k in enumerate(model.keys)}
+        score = sum(model.weights[place[k]] * np.log1p(50 * c / np.sqrt(len(words))) for k, c in counts.items() if k in place)
+        above = 1 / (1 + np.exp(model.theta - score))
+        assert np.isclose(got[r["doc_id"]]["p_toxic"], above[0]) and np.isclose(got[r["doc_id"]]["severity"], above.sum())
+        assert got[r["doc_id"]]["grade"] == int(np.argmax(np.append(1, above) - np.append(above, 0)))
+
+
+def test_quality_scores_by_formula():
+    rng = np.random.default_rng(6)
+    x = np.concatenate((rng.normal(0, 1, (80, 4)), rng.normal(1, 2, (120, 4))))
+    y = np.repeat([0, 1], [80, 120])
+    model = quality.fit_quadratic(x, y, 0.2, 0.1)
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    own = [np.cov(z[y == k].T, bias=True) for k in (0, 1)]
+    common = 0.4 * own[0] + 0.6 * own[1]
+    density = []
+    for k in (0, 1):
+        s = 0.8 * own[k] + 0.2 * common
+        s = 0.9 * s + 0.1 * np.trace(s) / 4 * np.eye(4)
+        e = z - z[y == k].mean(axis=0)
+        density.append(-0.5 * np.linalg.slogdet(s)[1] - 0.5 * np.einsum("ij,jk,ik->i", e, np.linalg.inv(s), e))
+    model.temperature = 3.0
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp((density[0] - density[1]) / 3 + np.log(80 / 120))))
+    t = quality.best_temperature(model.differences(x) * 50, y, model.log_priors)
+    assert 20 < t < 200  # what was made 50 times too sure is brought back
+    assert quality.best_temperature(np.array([1.0]), np.array([1]), model.log_priors) == 1.0
+
+
+def test_fingerprints_against_all_hashes(spark, docs):
+    got = fingerprint.edited_fingerprints(docs).toPandas()
+    order = sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda r: (r[0], r[1] or ""))
+
+    def hashes(t):
+        words = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        data, offsets = textvec.column_bytes(pa.array([words]))
+        return sorted({int(h) >> 16 for h in textvec.word_shingles(data, offsets)[0]})
+
+    def alike(x, y):
+        union = sorted(set(x) | set(y))[: fingerprint.K]
+        return sum(h in x and h in y for h in union) / len(union) if union else 1.0
+
+    want = []
+    for (k, a), (_, b) in zip(order, [*order[1:], order[0]]):
+        a, b = a or "", b or ""
+        x, e, y = (hashes(t)[: fingerprint.K] for t in (a, a[: len(a) - len(a) // 2] + b[: len(a) // 2], b))
+        want.append((k, len(a), x, e, alike(x, e), alike(x, y)))
+    rows_ = [(r.doc_id, r.n_chars, fingerprint.from_string(r.fingerprint).tolist(), fingerprint.from_string(r.edited_fingerprint).tolist(), r.near_edited, r.near_next) for r in got.itertuples()]
+    assert sorted(rows_, key=repr) == sorted(want, key=repr)
+
+
+def test_merging_and_comparing_fingerprints(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 400, 120)) for _ in range(9)]
+    df = spark.createDataFrame([(k, k % 2, t) for k, t in enumerate(texts)] + [(9, 1, None)], "doc_id long, part long, text string").repartition(4)
+    prints = fingerprint.fingerprints(df).join(df.select("doc_id", "part"), "doc_id")
+    got = {r["part"]: fingerprint.from_string(r["fingerprint"]).tolist() for r in fingerprint.merged_fingerprints(prints, "part").collect()}
+    for p in (0, 1):
+        data, offsets = textvec.column_bytes(pa.array([t for k, t in enumerate(texts) if k % 2 == p]))
+        assert got[p] == sorted({int(h) >> 16 for h in textvec.word_shingles(data, offsets)[0]})[: fingerprint.K]
+    pairs = spark.createDataFrame([(fingerprint.to_string(np.arange(5, dtype=np.uint64)), fingerprint.to_string(np.arange(3, 9, dtype=np.uint64))), (None, "")], "a string, b string")
+    one, none = (tuple(r)[2:] for r in fingerprint.compared(pairs, "a", "b").collect())
+    assert np.allclose(one, (2 / 9, 2 / 5, 5, 6)) and none == (None,) * 4
+
+
 def test_pieces_are_the_librarys():
     data, offsets = textvec.column_bytes(pa.array([t or "" for t in TEXTS]))
     ids, begin = bytebpe.library_ids(TOK).encode(data, offsets)
@@ -371,3 +485,47 @@ def test_pipeline_stages(spark):
             assert sorted(r["doc_id"] for r in kept.collect()) == [i for k, i in enumerate(ids) if groups[k] == k]
         docs_ = kept
     assert cp.STAGES[4][1](spark, docs_, sf).count() >= docs_.count()
+
+
+def test_pipeline_keeps_columns_and_drops_repeated_rows(spark):
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    base = [(k, "the same words again and again in one text " + "of a kind" * (k % 2), "en", "s", 1) for k in (0, 1, 2, 0, 1, 2)]
+    base += [(5, None, None, None, None), (None, base[0][1], "en", "s", 1), (6, "", "en", "s", 0), (7, "quite another text that stands alone here", "en", "s", 1), (7, base[0][1], "en", "s", 1)]
+    own = spark.createDataFrame(base, SCHEMA).selectExpr("*", "123 AS score", "7 AS predicted", "true AS toxic", "9 AS grade", "-5 AS size", "8 AS taken", "'n' AS node", "4 AS id", "5 AS component_id")
+    kept = cp.drop_near_copies(spark, own, sf)
+    want = [(0, base[0][1]), (1, base[1][1]), (5, None), (None, base[0][1]), (6, ""), (7, base[9][1])]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want) and kept.columns == own.columns
+    for _, stage in cp.STAGES[:4]:
+        out = stage(spark, own, sf).collect()
+        assert out and all((r["score"], r["predicted"], r["toxic"], r["grade"], r["size"], r["taken"], r["node"], r["id"]) == (123, 7, True, 9, -5, 8, "n", 4) for r in out)
+        assert stage(spark, own.filter("false"), sf).count() == 0
+    assert cp.STAGES[4][1](spark, own, sf).count() == len(base)
+
+
+def test_pipeline_stages_against_their_operators(spark):
+    import corpus_pipeline as cp
+
+    sf = "/root/testdata/sf0.001"
+    docs_ = cp._documents(spark, sf)
+    toxic = {r["doc_id"] for r in queries.op1_toxicity(spark, sf).filter("toxic").collect()}
+    bad = {r["doc_id"] for r in queries.op4_quality(spark, sf).filter("score < 0.5").collect()}
+    ids = {r["doc_id"] for r in docs_.collect()}
+    assert {r["doc_id"] for r in cp.drop_toxic(spark, docs_, sf).collect()} == ids - toxic
+    assert {r["doc_id"] for r in cp.drop_low_quality(spark, docs_, sf).collect()} == ids - bad
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs_).collect()}
+    words = Counter()
+    for r in cp.mix_sources(spark, docs_, sf).collect():
+        words[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    assert dict(words) == {k: n for k, n in taken.items() if n}
+    pieces = cp.pack_sequences(spark, docs_, sf).toPandas()
+    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {r["doc_id"]: len(_ids(r["text"])) + 1 for r in docs_.collect()}
+
+
+def test_repeated_ids_among_labelled_rows(spark):
+    from wearlake.llm.labelled import class_counts, labelled_sample
+
+    d = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "e")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (3, 0), (None, 1), (9, 0)], "doc_id long, quality int")
+    assert labelled_sample(d, labels, "quality", 10).count() == 2 and class_counts(labels, "quality") == (2, 1)

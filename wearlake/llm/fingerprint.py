@@ -93,6 +93,49 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fingerprint string")
 
 
+def compared(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """pairs with resemblance, containment (of a in b), distinct_a and distinct_b, estimated from two columns of
+    fingerprints; null where a fingerprint is null."""
+    names, added = pairs.columns, ["resemblance", "containment", "distinct_a", "distinct_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x, y in zip(batch.column(names.index(a)).to_pylist(), batch.column(names.index(b)).to_pylist()):
+                u, v = (None if t is None else from_string(t) for t in (x, y))
+                known = u is not None and v is not None
+                found.append((resemblance(u, v), containment(u, v), distinct_count(u), distinct_count(v)) if known else (None,) * 4)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([f[k] for f in found], pa.float64()) for k in range(4))], [*names, *added])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema)
+    return pairs.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} double" for c in added))
+
+
+def merged_fingerprints(rows: DataFrame, key: str, column: str = "fingerprint") -> DataFrame:
+    """(key, fingerprint) of the union of each key's texts.  Fingerprints are merged in their partitions first, so that a
+    key shuffles one row per batch, whatever its size; null fingerprints don't count."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def join(keys: list, prints: list) -> tuple[list, list]:
+        out: dict = {}
+        for k, x in zip(keys, prints):
+            own = from_string(x)
+            out[k] = merge(out[k], own) if k in out else own
+        return list(out), [to_string(x) for x in out.values()]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, prints = join(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(prints, pa.string())], [key, "fingerprint"])
+
+    def whole(table: pa.Table) -> pa.Table:
+        keys, prints = join(table.column(0).to_pylist(), table.column(1).to_pylist())
+        return pa.table([pa.array(keys, table.schema.field(0).type), pa.array(prints, pa.string())], names=[key, "fingerprint"])
+
+    schema = f"`{key}` {kind}, fingerprint string"
+    return rows.filter(F.col(column).isNotNull()).select(key, column).mapInArrow(part, schema).groupBy(key).applyInArrow(whole, schema)
+
+
 def in_order(docs: DataFrame, rows_per_part: int = 1000, most_parts: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(part, sentinel, id, text) sorted inside partitions so that a row's successor by (id, text) is the next row of its part.
 

@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
@@ -431,6 +431,21 @@ def _written_sets(docs: DataFrame, n: int, percent: int, hot: int, id_col: str,
     return both, both.filter("l > 0").drop("id"), nodes
 
 
+def _classified(docs: DataFrame, n: int, percent: int, hot: int, pairs_per_posting: float, rounds: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, node, n_shingles, component_id) of every document."""
+    spark = docs.sparkSession
+    both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
+    found = jaccard_links(spark, sets, percent, rounds, pairs_per_posting)
+    parts = connected_components(_all_links(spark, found))
+    discard(both, *found)
+    classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
+    classes = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = classes.join(smallest, "component").select(F.col("node").alias("c_node"), "component_id")
+    rows = nodes.join(named, nodes.node == named.c_node, "left")
+    return rows.select("id", "node", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 
@@ -442,17 +457,45 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int
     smallest).  Ids are long integers.  Repeated rows are kept; other columns
     are left out; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
-    found = jaccard_links(spark, sets, percent, rounds, pairs_per_posting)
-    parts = connected_components(_all_links(spark, found))
-    discard(both, *found)
-    classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    classes = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "component").select(F.col("node").alias("c_node"), "component_id")
-    rows = nodes.join(named, nodes.node == named.c_node, "left")
-    return rows.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    rows = _classified(docs, n, percent, hot, pairs_per_posting, rounds, id_col, text_col)
+    return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id")
+
+
+def _with_nodes(docs: DataFrame, n: int, text_col: str) -> DataFrame:
+    """docs with _node, the signature of the text's words (null without words)."""
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, empty = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+            for _, _, data, offsets in tv.blocks(batch.column(names.index(text_col))):
+                data = tv.fold_ascii(data)
+                starts, ends, first = tv.word_bounds(data, offsets)
+                nodes.append(_signatures(data, starts, ends, first)[1])
+                empty.append(np.diff(first) == 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, "_node"])
+
+    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _node long")
+
+
+def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component of ``jaccard_components`` that has words and ids: the row of the smallest id.
+
+    Rows with a null id and rows without words stay as they are.  Of rows with
+    one id and the same words one stays.  All columns are kept.
+    """
+    rows = materialise(_classified(docs, n, percent, 1024, 4, 3, id_col, text_col), "rows")
+    known = rows.filter("id is not null")
+    gone = known.filter("id <> component_id").select(F.col("id").alias("_id")).distinct()
+    if known.groupBy("id").count().filter("count > 1").isEmpty():
+        return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+    # ids occur several times: a row is told by its id and its words
+    firsts = known.filter("node is not null and id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.node").alias("_first"))
+    tagged = _with_nodes(docs, n, text_col)
+    apart = F.col(id_col).isNull() | F.col("_node").isNull()
+    kept = tagged.filter(~apart).join(firsts, (F.col(id_col) == F.col("_id")) & (F.col("_node") == F.col("_first")))
+    kept = kept.withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_first").orderBy(F.lit(0)))).filter("_place = 1")
+    return kept.select(*docs.columns).unionByName(tagged.filter(apart).select(*docs.columns))
 
 
 def _all_links(spark: SparkSession, found: list[DataFrame]) -> DataFrame:

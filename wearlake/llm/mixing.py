@@ -10,12 +10,14 @@ whole epochs first, then the documents in key order, the last one in part.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearlake.llm.runtime import materialise
+
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hexadecimal digits of the key that make the bucket.
-BUCKET_DIGITS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -52,21 +54,31 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), sha
     return levels.select("source", "source_size", F.when(F.col("stops"), F.col("cap")).otherwise(F.col("weight") * F.col("final")).alias("target"))
 
 
-def mix(docs: DataFrame, keep: bool = False, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def bucket_digits(rows: int, each: int = 2000) -> int:
+    """Hexadecimal digits of the hash that cut ``rows`` into ranges of about ``each``, at least one."""
+    return max(1, min(12, math.ceil(math.log(max(rows, 1) / each, 16)) if rows > each else 1))
+
+
+def mix(docs: DataFrame, keep: bool = False, seed: str = "mix-1", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", prefix: str = "") -> DataFrame:
     """One row per document: id, size, source_size, target, taken (words the mix takes of it, repeats counted).
 
-    With ``keep`` all input columns come too (input columns of those names are
-    replaced).  A source's taken words are its target, rounded down.  A null
-    text has size 0 and nothing taken; a null source is a source; rows with
-    equal ids are ordered by size, and equal rows are interchangeable; an empty
-    table gives an empty result.  Reruns agree.
+    With ``keep`` all input columns come too.  The last four are named with
+    ``prefix``; input columns of those names are replaced.  A source's taken
+    words are its target, rounded down.  A null text has size 0 and nothing
+    taken; a null source is a source; rows with equal ids are ordered by size,
+    and equal rows are interchangeable; an empty table gives an empty result.
+    Reruns agree.
     """
-    columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")] if keep else [id_col]
+    added = [f"{prefix}{c}" for c in ("size", "source_size", "target", "taken")]
+    columns = [c for c in docs.columns if c not in added] if keep else [id_col]
     inner = {c: f"_c{k}" for k, c in enumerate(columns)}
     sized = docs.select(
         *(F.col(f"`{c}`").alias(n) for c, n in inner.items()), F.col(source_col).alias("source"), F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
-    ).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    )
+    if not keep:  # narrow rows: words are counted once
+        sized = materialise(sized, "sized")
+    sized = sized.withColumn("bucket", F.substring("key", 1, bucket_digits((docs if keep else sized).count())))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
     earlier = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("size").alias("size"))).withColumnRenamed("source", "t_source")
@@ -80,7 +92,8 @@ def mix(docs: DataFrame, keep: bool = False, seed: str = "mix-1", id_col: str =
     whole = F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(F.lit(0))
     rest = budget - whole * F.col("source_size")
     taken = whole * F.col("size") + F.least(F.col("size"), F.greatest(F.lit(0), rest - F.col("base") - F.col("inside")))
-    return placed.select(*(F.col(n).alias(c) for c, n in inner.items()), "size", "source_size", "target", taken.cast("long").alias("taken"))
+    results = (F.col("size"), F.col("source_size"), F.col("target"), taken.cast("long"))
+    return placed.select(*(F.col(n).alias(c) for c, n in inner.items()), *(x.alias(c) for x, c in zip(results, added)))
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
@@ -90,15 +103,14 @@ def mixed_documents(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     white space between them; n_chars, where there is one, follows it.
     """
     names = docs.columns
-    rows = mix(docs, keep=True, seed=seed)
-    part = F.col("taken") % F.col("size")
-    copies = F.concat(
-        F.array_repeat(F.lit(0).cast("long"), F.floor(F.col("taken") / F.col("size")).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
-    )
-    rows = rows.filter("taken > 0").withColumn("first_words", F.explode(copies))
+    rows = mix(docs, keep=True, seed=seed, prefix="_mix_")
+    taken, size, first = F.col("_mix_taken"), F.col("_mix_size"), F.col("_mix_first")
+    part = taken % size
+    copies = F.concat(F.array_repeat(F.lit(0).cast("long"), F.floor(taken / size).cast("int")), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")))
+    rows = rows.filter(taken > 0).withColumn("_mix_first", F.explode(copies))
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    cut = F.when(F.col("first_words") > 0, F.array_join(F.slice(pieces, F.lit(1), F.col("first_words").cast("int")), "")).otherwise(F.col("text"))
+    cut = F.when(first > 0, F.array_join(F.slice(pieces, F.lit(1), first.cast("int")), "")).otherwise(F.col("text"))
     rows = rows.withColumn("text", cut)
     if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("first_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(first > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*names)

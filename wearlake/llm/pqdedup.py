@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import connected_components, materialise
+from wearlake.llm.runtime import connected_components, discard, materialise
 
 
 @dataclass
@@ -221,7 +221,8 @@ def near_duplicate_vectors(
 
     found = asked.select(*columns).union(held.select(*columns)).groupBy(*where, "q", "m").applyInArrow(link, "node long, links long, least long")
     found = materialise(found, "vector-links")
-    parts = materialise(connected_components(found, "node", "least"), "vector-components")
+    discard(coded)
+    parts = connected_components(found, "node", "least")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     classes = nodes.select("node", "copies", "least").join(parts, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))

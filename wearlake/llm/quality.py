@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
-from wearlake.llm.labelled import labelled_sample
+from wearlake.llm.labelled import class_counts, labelled_sample
 from wearlake.llm.runtime import discard
 
 STATISTICS = (
@@ -76,7 +76,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class QuadraticModel:
-    """Centre and scale of the statistics; for each class its mean, lower Cholesky factor, log determinant and log prior."""
+    """Centre and scale of the statistics; for each class its mean, lower Cholesky factor, log determinant and log prior;
+    the temperature by which log-density differences are divided."""
 
     centre: np.ndarray
     scale: np.ndarray
@@ -84,14 +85,20 @@ class QuadraticModel:
     factors: np.ndarray
     log_dets: np.ndarray
     log_priors: np.ndarray
+    temperature: float = 1.0
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
+    def differences(self, x: np.ndarray) -> np.ndarray:
+        """Log density of class 1 less that of class 0."""
         z = (x - self.centre) / self.scale
         density = []
-        for mean, factor, log_det, prior in zip(self.means, self.factors, self.log_dets, self.log_priors):
+        for mean, factor, log_det in zip(self.means, self.factors, self.log_dets):
             y = np.linalg.solve(factor, (z - mean).T)
-            density.append(prior - 0.5 * log_det - 0.5 * np.sum(y * y, axis=0))
-        return 1 / (1 + np.exp(-np.clip(density[1] - density[0], -500, 500)))
+            density.append(-0.5 * log_det - 0.5 * np.sum(y * y, axis=0))
+        return density[1] - density[0]
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        odds = self.differences(x) / self.temperature + self.log_priors[1] - self.log_priors[0]
+        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
 
 
 def fit_quadratic(x: np.ndarray, y: np.ndarray, pooled: float = 0.1, ridge: float = 0.05) -> QuadraticModel:
@@ -119,36 +126,68 @@ def fit_quadratic(x: np.ndarray, y: np.ndarray, pooled: float = 0.1, ridge: floa
     return QuadraticModel(centre, scale, np.array(means), np.array(factors), np.array(dets), np.array(priors))
 
 
+def best_temperature(difference: np.ndarray, y: np.ndarray, log_priors: np.ndarray) -> float:
+    """The temperature, 1 at least, of least log loss on rows that the densities weren't fitted on.
+
+    Classes weigh as their priors.  Labels are smoothed to (n + 1) / (n + 2) and
+    1 / (n + 2) of their class, so that separable rows don't ask for certainty.
+    """
+    n = [int((y == k).sum()) for k in (0, 1)]
+    if not all(n):
+        return 1.0
+    goal = np.where(y == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    weight = np.where(y == 1, np.exp(log_priors[1]) / n[1], np.exp(log_priors[0]) / n[0])
+    tried = np.exp(np.linspace(0, np.log(1e4), 400))
+
+    def loss(t: float) -> float:
+        odds = difference / t + log_priors[1] - log_priors[0]
+        return float((weight * (np.logaddexp(0, -odds) * goal + np.logaddexp(0, odds) * (1 - goal))).sum())
+
+    return float(tried[int(np.argmin([loss(t) for t in tried]))])
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the rows whose labels are never learned: crc32 of the id as text, modulo 3, is 1.  A null id isn't held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 10_000) -> QuadraticModel:
-    """Fit on at most ``per_class`` labelled documents of each class that aren't held out."""
+def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, calibrate: int = 5) -> QuadraticModel:
+    """Fit on at most ``per_class`` labelled documents of each class that aren't held out.
+
+    Every ``calibrate``-th of them by a hash of its text sets the temperature,
+    the others the densities; priors are the classes' shares of all labels that
+    aren't held out.
+    """
     sample = labelled_sample(docs, labels, "quality", per_class, ~held_out(F.col("doc_id")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(data, offsets) for _, _, data, offsets in tv.blocks(batch.column(0)))])
             flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([flat, batch.column(1)], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([flat, batch.column(1), batch.column(2)], ["x", "y", "k"])
 
-    found = sample.select("text", "y").mapInArrow(rows, "x array<double>, y int").toPandas()  # at most 2 * per_class rows of 15 numbers
+    place = F.pmod(F.xxhash64("text"), F.lit(calibrate)).cast("int")
+    found = sample.select("text", "y", place.alias("k")).mapInArrow(rows, "x array<double>, y int, k int").toPandas()  # at most 2 * per_class rows of 15 numbers
     discard(sample)
-    x = np.array(found["x"].to_list(), float).reshape(-1, len(STATISTICS))
-    return fit_quadratic(x, found["y"].to_numpy())
+    x, y, late = np.array(found["x"].to_list(), float).reshape(-1, len(STATISTICS)), found["y"].to_numpy(), found["k"].to_numpy() == 0
+    model = fit_quadratic(x[~late], y[~late])
+    n = class_counts(labels, "quality", ~held_out(F.col("doc_id")))
+    model.log_priors = np.log(np.maximum(np.array(n, float), 1) / max(sum(n), 1))
+    model.temperature = best_temperature(model.differences(x[late]), y[late], model.log_priors)
+    return model
 
 
-def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, prefix: str = "") -> DataFrame:
     """``id_col``, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5) of every whole text.
 
     With ``keep`` all input columns and these two.  Only the text is an input of
     the score.  A null text counts as empty and gets the score of an empty
     text; rows are scored one by one, so repeats, ties and null ids need no
-    rule.  Input columns named like a result are replaced.
+    rule.  Results are named with ``prefix``; input columns named like a result
+    are replaced.
     """
-    base = docs.drop("score", "predicted") if keep else docs.select(id_col, text_col)
+    added = [f"{prefix}score", f"{prefix}predicted"]
+    base = docs.drop(*added) if keep else docs.select(id_col, text_col)
     names = base.columns
     at_text, out_names = names.index(text_col), names if keep else [id_col]
 
@@ -156,9 +195,9 @@ def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id"
         for batch in batches:
             s = np.concatenate([np.zeros(0), *(model.scores(statistics(data, offsets)) for _, _, data, offsets in tv.blocks(batch.column(at_text)))])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(names.index(c)) for c in out_names), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*out_names, "score", "predicted"]
+                [*(batch.column(names.index(c)) for c in out_names), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*out_names, *added]
             )
         tv.trim()
 
     kinds = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in out_names)
-    return base.mapInArrow(score, f"{kinds}, score double, predicted int")
+    return base.mapInArrow(score, f"{kinds}, `{added[0]}` double, `{added[1]}` int")

@@ -14,10 +14,11 @@ its best linked unit: of its own conversation before others, then the lowest
 level, the longest unit, the latest original.  A message without a linked
 quotation replies to the turn before it.
 
-Originals are pre-aggregated per hash (and conversation) before any join, so a
-passage that many messages share is one row.  Turns before a message are found
-in two steps, inside blocks of turns and over one row per block, so a very long
-conversation isn't one window.
+Messages are parsed and hashed once and written.  Originals are pre-aggregated
+per hash (and conversation) before any join, so a passage that many messages
+share is one row.  Turns before a message, and its rank in the reply order, are
+found in steps, inside blocks of turns and over one row per block, so a very
+long conversation isn't one window.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearlake.llm.runtime import materialise
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = r"[\x20\x09-\x0D]+"
 MARK = r"^[ \t]*>[> \t]*"
@@ -32,6 +35,8 @@ INTRODUCTION = r"^On .{1,200} wrote:[ \t]*$"
 PARAGRAPH = r"\n[ \t]*\n"
 #: Turns per block of the two-step windows.
 TURNS = 64
+#: Stands for the parent of messages without one in their conversation, before all turns.
+_FIRST = -(1 << 62)
 
 
 def normalised(text: Column) -> Column:
@@ -69,6 +74,18 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     return parsed.withColumn("own", F.regexp_replace(own, rf"^{WHITE}|{WHITE}$", "")).drop("_clean", "_lines", "_starts")
 
 
+def _before(rows: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
+    """keys, ``value`` and how many (the sum of ``n``) rows of the same keys have a smaller value, from one row per value:
+    inside blocks of TURNS values, and over one row a block."""
+    rows = rows.withColumn("_block", F.floor(F.col(value) / TURNS))
+    inside = F.sum(n).over(Window.partitionBy(*keys, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
+    blocks = rows.groupBy(*keys, "_block").agg(F.sum(n).alias("_n"))
+    ahead = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select(*keys, "_block", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
+    joined = rows.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(blocks, [*keys, "_block"])
+    return joined.select(*keys, value, (F.col("_inside") + F.col("_ahead")).alias("before"))
+
+
 def link_quotations(conversations: DataFrame) -> DataFrame:
     """Every message of ``conversations`` (conv_id, turn, role, text) without quotations, with what it replies to.
 
@@ -76,25 +93,31 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     the own text), n_quotes (quoted passages with any text), n_linked (of these,
     with an original), parent_conv_id, parent_turn (-1: none), linked (the parent is an
     original of a quotation), position (messages of earlier turns in the
-    conversation), ordered by conversation and reply: conv_id, parent_turn of
-    the same conversation, turn.
+    conversation) and reply_rank: how many messages of the conversation come
+    before it in reply order, which is by the turn of the parent (those without
+    a parent in the conversation first), then by turn.  ``assembled`` puts the
+    conversations together.
 
     A null text is empty, a null role is "".  A message with a null conv_id or
-    turn has no position and no parent and is nobody's original.  Rows with
+    turn has no position, rank or parent and is nobody's original.  Rows with
     equal conv_id and turn are kept and share what precedes them; other columns
     are left out; an empty table gives an empty result.
     """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("source"))
-    parsed = parse_quotes(rows, "source").withColumn("key", F.md5("source"))
     placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
-
     own = F.filter("passages", lambda p: p["level"] == 0)
-    units = parsed.filter(placed).select("conv_id", "turn", F.explode(_units(F.concat(F.array("own"), F.transform(own, lambda p: p["body"])))).alias("unit"))
     quoted = F.filter("passages", lambda p: (p["level"] > 0) & (normalised(p["body"]) != ""))
+    parsed = parse_quotes(rows, "source").select(
+        "conv_id", "turn", "role", "own", F.md5("source").alias("key"), _units(F.concat(F.array("own"), F.transform(own, lambda p: p["body"]))).alias("own_units"),
+        F.transform(quoted, lambda p: F.struct(p["level"].alias("level"), _units(F.array(p["body"])).alias("units"))).alias("quoted"),
+    )
+    parsed = materialise(parsed, "messages")
+
+    units = parsed.filter(placed).select("conv_id", "turn", F.explode("own_units").alias("unit"))
     asked = (
-        parsed.filter(placed & (F.size(quoted) > 0))
-        .select("conv_id", "turn", "key", F.posexplode(quoted).alias("passage", "p"))
-        .select("conv_id", "turn", "key", "passage", F.col("p.level").alias("level"), F.explode(_units(F.array("p.body"))).alias("unit"))
+        parsed.filter(placed & (F.size("quoted") > 0))
+        .select("conv_id", "turn", "key", F.posexplode("quoted").alias("passage", "p"))
+        .select("conv_id", "turn", "key", "passage", F.col("p.level").alias("level"), F.explode("p.units").alias("unit"))
         .select("conv_id", "turn", "key", "passage", "level", "unit.hash", "unit.size")
         .distinct()
     )
@@ -114,7 +137,7 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     )
 
     # turns before a message: inside its block of turns, else the last of the block before
-    blocked = parsed.select("conv_id", "turn", "role", "own", "key", F.size(quoted).cast("long").alias("n_quotes"), F.floor(F.col("turn") / TURNS).alias("block"))
+    blocked = parsed.select("conv_id", "turn", "role", "own", "key", F.size("quoted").cast("long").alias("n_quotes"), F.floor(F.col("turn") / TURNS).alias("block"))
     blocks = blocked.filter(placed).groupBy("conv_id", "block").agg(F.max("turn").alias("last"), F.count("*").alias("n"))
     by_block = Window.partitionBy("conv_id").orderBy("block")
     blocks = blocks.select("conv_id", "block", F.lag("last").over(by_block).alias("b_turn"), F.coalesce(F.sum("n").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b_rows"))
@@ -123,14 +146,27 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     joined = within.join(blocks, ["conv_id", "block"], "left").join(best, ["conv_id", "turn", "key"], "left")
     linked = F.col("best").isNotNull()
     before = F.coalesce("w_turn", "b_turn")
-    result = joined.select(
+    told = joined.select(
         "conv_id", "turn", "role", F.col("own").alias("text"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own").alias("formatted"),
         "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         F.coalesce(F.when(linked, F.negate("best.back")).when(placed & before.isNotNull(), F.col("conv_id")), F.lit(-1)).alias("parent_conv_id"),
         F.coalesce(F.when(linked, F.col("best.p_turn")).when(placed, before), F.lit(-1)).alias("parent_turn"),
         linked.alias("linked"), F.when(placed, F.col("w_rows") + F.col("b_rows")).alias("position"),
     )
-    return result.orderBy("conv_id", F.when(F.col("parent_conv_id") == F.col("conv_id"), F.col("parent_turn")), "turn")
+    # reply order: messages with a smaller parent, and messages of the same parent with a smaller turn
+    told = materialise(told.withColumn("_parent", F.coalesce(F.when(F.col("parent_conv_id") == F.col("conv_id"), F.col("parent_turn")), F.lit(_FIRST))), "replies")
+    counted = told.filter(placed).groupBy("conv_id", "_parent", "turn").agg(F.count("*").alias("n"))
+    siblings = _before(counted, ["conv_id", "_parent"], "turn", "n").withColumnRenamed("before", "_siblings")
+    families = _before(counted.groupBy("conv_id", "_parent").agg(F.sum("n").alias("n")), ["conv_id"], "_parent", "n").withColumnRenamed("before", "_families")
+    ranked = told.join(siblings, ["conv_id", "_parent", "turn"], "left").join(families, ["conv_id", "_parent"], "left")
+    return ranked.withColumn("reply_rank", F.col("_siblings") + F.col("_families")).drop("_parent", "_siblings", "_families")
+
+
+def assembled(linked: DataFrame, messages: int = TURNS) -> DataFrame:
+    """Conversations in reply order, from ``link_quotations``: (conv_id, part, messages), where messages is an array of (reply_rank,
+    turn, role, text), at most about ``messages`` a part, since a conversation may have any length.  Messages without a place stay out."""
+    rows = linked.filter("reply_rank is not null").withColumn("part", F.floor(F.col("reply_rank") / messages))
+    return rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("reply_rank", "turn", "role", "text"))).alias("messages"))
 
 
 #: The same rows in DuckDB SQL over a table ``conversations``.
@@ -184,11 +220,14 @@ WITH msgs AS (
 ), before AS (
   SELECT id, max(turn) OVER w AS b_turn, count(*) OVER w AS position FROM placed
   WINDOW w AS (PARTITION BY conv_id ORDER BY turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-)
+), told AS (
 SELECT m.conv_id, m.turn, m.role, coalesce(o.own, '') AS text, '<|' || m.role || '|>' || chr(10) || coalesce(o.own, '') AS formatted,
   coalesce(q.n_quotes, 0) AS n_quotes, coalesce(b.n_linked, 0) AS n_linked,
   coalesce(CASE WHEN b.id IS NOT NULL THEN -b.b[5] WHEN e.b_turn IS NOT NULL THEN m.conv_id END, -1) AS parent_conv_id,
   coalesce(CASE WHEN b.id IS NOT NULL THEN b.b[4] ELSE e.b_turn END, -1) AS parent_turn,
   b.id IS NOT NULL AS linked, e.position
 FROM msgs m LEFT JOIN owns o USING (id) LEFT JOIN quotes q USING (id) LEFT JOIN best b USING (id) LEFT JOIN before e USING (id)
+)
+SELECT *, CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN
+  rank() OVER (PARTITION BY conv_id, turn IS NULL ORDER BY CASE WHEN parent_conv_id = conv_id THEN parent_turn END NULLS FIRST, turn) - 1 END AS reply_rank FROM told
 """

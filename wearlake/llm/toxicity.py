@@ -165,17 +165,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, feat
     return OrdinalModel(keys, w, theta)
 
 
-def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, prefix: str = "") -> DataFrame:
     """Expected severity of every whole text.
 
     Returns ``id_col``, p_toxic (P(grade > 0)), severity (expected grade), grade
     (most probable) and toxic (p_toxic >= 0.5); with ``keep`` all input columns
     and these.  A null, empty or wordless text has no features and gets the
     scores of an empty feature vector; every row is scored by itself, so ties,
-    repeats and null ids need no rule.  Input columns named like a result are
-    replaced.
+    repeats and null ids need no rule.  Results are named with ``prefix``;
+    input columns named like a result are replaced.
     """
-    added = ["p_toxic", "severity", "grade", "toxic"]
+    added = [f"{prefix}{c}" for c in ("p_toxic", "severity", "grade", "toxic")]
     base = docs.drop(*added) if keep else docs.select(id_col, text_col)
     names = base.columns
     at_text, out_names = names.index(text_col), names if keep else [id_col]
@@ -196,4 +196,5 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
         tv.trim()
 
     kinds = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in out_names)
-    return base.mapInArrow(score, f"{kinds}, p_toxic double, severity double, grade int, toxic boolean")
+    results = ", ".join(f"`{c}` {kind}" for c, kind in zip(added, ("double", "double", "int", "boolean")))
+    return base.mapInArrow(score, f"{kinds}, {results}")
