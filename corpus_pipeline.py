@@ -8,15 +8,13 @@ writes each stage as Parquet in the shared folder and reads it again.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wearlake.llm import jaccard, mixing, packing, quality, toxicity
 from wearlake.llm.queries import TOKENIZER
-from wearlake.llm.runtime import materialise
+from wearlake.llm.runtime import discard, materialise
 
-#: A document is rejected for quality below this score.  The discriminant's posterior is overconfident: bad documents
-#: score next to 0, and doubtful ones stay.
-REJECT_BELOW = 0.01
+#: Results of the classifiers have names with this prefix until they are dropped, so that no column of documents is lost.
+OWN = "_corpus_"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,20 +28,18 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of any toxic grade is below one half."""
     model = toxicity.fit_toxicity(_documents(spark, sf_dir), _labels(spark, sf_dir))
-    return toxicity.score_toxicity(docs, model, keep=True).filter("not toxic").select(*docs.columns)
+    return toxicity.score_toxicity(docs, model, keep=True, prefix=OWN).filter(f"not {OWN}toxic").select(*docs.columns)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a quality score of REJECT_BELOW or more."""
+    """Documents whose quality score is one half or more."""
     model = quality.fit_quality(_documents(spark, sf_dir), _labels(spark, sf_dir))
-    return quality.score_quality(docs, model, keep=True).filter(F.col("score") >= REJECT_BELOW).select(*docs.columns)
+    return quality.score_quality(docs, model, keep=True, prefix=OWN).filter(f"{OWN}predicted = 1").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies; documents with a null id stay."""
-    found = jaccard.jaccard_components(docs)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each group of near copies, one row of it; documents with a null id stay."""
+    return jaccard.drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,5 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = _documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        done = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(docs)  # a stage's own table; documents have no such mark
+        docs = done
     return docs
