@@ -302,7 +302,7 @@ def differing(maps: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
     return out
 
 
-def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 600, block: int = 1024) -> DataFrame:
+def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 600, block: int = 512) -> DataFrame:
     """All pairs of different components that share enough prefix shingles and whose sizes and bitmaps allow a link.
 
     |a & b| is at most the number of shingles that either node shares with any
@@ -312,13 +312,14 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
 
     Lists with the same leader mostly hold the same nodes, so they are counted
     together, in parts of about ``group`` postings: a pair is emitted once per
-    part, not once per shared shingle.  A list of over 2 * ``block`` nodes is
-    dealt to the cells of a grid of blocks of about ``block`` nodes instead; a
+    part, not once per shared shingle.  A list of over ``group`` nodes is a part
+    of its own; one of over 2 * ``block`` nodes is dealt to the cells of a grid of blocks of about ``block`` nodes instead; a
     cell has the pairs of one block with another or with itself.
     """
     long = lists.filter(F.col("n") > 2 * block).select("token", F.ceil(F.col("n") / block).cast("long").alias("b"))
-    short = lists.filter(F.col("n") <= 2 * block).select("token", F.col("x.node").alias("leader"), "n")
-    totals = short.groupBy("leader").agg(F.ceil(F.sum("n") / group).alias("parts"))
+    leader = F.when(F.col("n") > group, F.col("token")).otherwise(F.col("x.node"))
+    short = lists.filter(F.col("n") <= 2 * block).select("token", leader.alias("leader"), F.when(F.col("n") <= group, F.col("n")).otherwise(0).alias("n"))
+    totals = short.groupBy("leader").agg(F.greatest(F.ceil(F.sum("n") / group), F.lit(1)).alias("parts"))
     dealt = short.join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
     fields = ("token", "node", "size", "l", "shared", "comp")
     plain = tokens.join(dealt, "token").select("leader", "part", *fields, F.lit(0).alias("side"))
