@@ -464,6 +464,19 @@ def test_merging_and_comparing_fingerprints(spark):
     assert np.allclose(one, (2 / 9, 2 / 5, 5, 6)) and none == (None,) * 4
 
 
+def test_long_texts_in_slices_are_the_same(monkeypatch):
+    rng = np.random.default_rng(4)
+    text = " ".join(f"W{x}!" + "\n" * int(x % 5 == 0) for x in rng.integers(0, 300, 3000)) + " é" * 40
+    for t in (text, "a b c", "x" * 900, " " * 700, "one two three four " + " " * 700, ""):
+        data, offsets = textvec.column_bytes(pa.array([t]))
+        keys = np.unique(np.concatenate(toxicity.feature_hits(data, offsets)[0])) if t else np.zeros(0, np.uint64)
+        whole = fingerprint.sketches(data, offsets)[0], [*toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)]
+        monkeypatch.setattr(textvec, "SLICE", 256)
+        cut = fingerprint.sketches(data, offsets)[0], [*toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)]
+        monkeypatch.undo()
+        assert np.array_equal(whole[0], cut[0]) and all(np.array_equal(x, y) for x, y in zip(whole[1], cut[1]))
+
+
 def test_pieces_are_the_librarys():
     data, offsets = textvec.column_bytes(pa.array([t or "" for t in TEXTS]))
     ids, begin = bytebpe.library_ids(TOK).encode(data, offsets)

@@ -26,7 +26,9 @@ _SPAN = float(1 << 48)
 
 
 def sketches(data: np.ndarray, offsets: np.ndarray, k: int = K, n: int = SHINGLE) -> list[np.ndarray]:
-    """The sketch of each text: lower-cased words, n-word shingles."""
+    """The sketch of each text: lower-cased words, n-word shingles.  A long text is worked through in slices."""
+    if len(offsets) == 2 and len(data) > tv.SLICE:
+        return [_long_sketch(data, k, n)]
     data = tv.fold_ascii(data)
     starts, ends, first = tv.word_bounds(data, offsets)
     hashes, begin = tv.shingle_hashes(tv.span_hashes(data, starts, ends), first, n)
@@ -41,6 +43,25 @@ def sketches(data: np.ndarray, offsets: np.ndarray, k: int = K, n: int = SHINGLE
     return out
 
 
+def _long_sketch(data: np.ndarray, k: int, n: int) -> np.ndarray:
+    """The sketch of one text from slices, each with the last n - 1 words before it."""
+    own, held = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    cuts = tv.blank_cuts(data)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        part = tv.fold_ascii(data[a:b])
+        starts, ends, _ = tv.word_bounds(part, np.array([0, b - a]))
+        words = np.concatenate((held, tv.span_hashes(part, starts, ends)))
+        if len(words) >= n:
+            hashes = tv.shingle_hashes(words, np.array([0, len(words)]), n)[0] >> np.uint64(16)
+            few = hashes if len(hashes) <= 8 * k else np.partition(hashes, 4 * k)[: 4 * k]
+            few = np.unique(few)
+            own = np.union1d(own, few if len(few) >= k else np.unique(hashes))[:k]
+        held = words[len(words) - min(len(words), n - 1) :]
+    if not len(own) and len(held):  # fewer words than a shingle: none was longer, so all are held
+        own = tv.shingle_hashes(held, np.array([0, len(held)]), n)[0] >> np.uint64(16)
+    return own
+
+
 def merge(a: np.ndarray, b: np.ndarray, k: int = K) -> np.ndarray:
     """The sketch of the union."""
     return np.union1d(a, b)[:k]

@@ -50,21 +50,19 @@ HOT = (1 << 31) - 1
 _SALTS = 16
 
 
-def _signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes, and a 63-bit signature of each text's word sequence."""
-    words = tv.span_hashes(data, starts, ends)
+def _signatures(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 63-bit signature of each text's word sequence, from the hashes of all words."""
     size = np.diff(first)
     place = (np.arange(len(words)) - np.repeat(first[:-1], size)).astype(np.uint64)
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tv.mix64(words ^ (place * np.uint64(0x9E3779B97F4A7C15))))))
     value = tv.mix64((sums[first[1:]] - sums[first[:-1]]) ^ (size.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)))
-    return words, (value >> np.uint64(1)).astype(np.int64)
+    return (value >> np.uint64(1)).astype(np.int64)
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures, distinct shingles in a row, and the index of each text's first."""
-    data = tv.fold_ascii(data)
-    starts, ends, first = tv.word_bounds(data, offsets)
-    words, signature = _signatures(data, starts, ends, first)
+    words, first = tv.word_hashes(data, offsets)
+    signature = _signatures(words, first)
     shingles, begin = tv.distinct_by_text(*tv.shingle_hashes(words, first, n))
     return signature, shingles, begin
 
@@ -470,9 +468,8 @@ def _with_nodes(docs: DataFrame, n: int, text_col: str) -> DataFrame:
         for batch in batches:
             nodes, empty = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
             for _, _, data, offsets in tv.blocks(batch.column(names.index(text_col))):
-                data = tv.fold_ascii(data)
-                starts, ends, first = tv.word_bounds(data, offsets)
-                nodes.append(_signatures(data, starts, ends, first)[1])
+                words, first = tv.word_hashes(data, offsets)
+                nodes.append(_signatures(words, first))
                 empty.append(np.diff(first) == 0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, "_node"])
 

@@ -196,10 +196,8 @@ def near_duplicate_vectors(
         near = model.distances(x, at_list, codes) - get("error", 1).to_numpy()[None, :] <= radius
         near &= q_node[:, None] != m_node[None, :]
         a, b = np.nonzero(near)
-        if len(a) * 8 > near.size:
-            exact = (x @ y.T)[a, b]
-        else:
-            exact = np.concatenate([np.einsum("ij,ij->i", x[a[k : k + 65536]], y[b[k : k + 65536]]) for k in range(0, len(a), 65536)]) if len(a) else np.zeros(0)
+        # one way for all pairs, so that a pair at the threshold is judged alike in every block
+        exact = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", x[a[k : k + 65536]], y[b[k : k + 65536]]) for k in range(0, len(a), 65536))])
         keep = exact >= cosine
         a, b = a[keep], b[keep]
         if not len(a):

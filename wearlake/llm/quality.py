@@ -39,9 +39,18 @@ def _share(part: np.ndarray, whole: np.ndarray, usual: float, weight: float) ->
 def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A row of transformed statistics for each text; an empty text has those of no words and no bytes."""
     n = len(offsets) - 1
-    upto = lambda mask: np.concatenate(([0], np.cumsum(mask)))
-    per_text = lambda mask: np.diff(upto(mask)[offsets])
     kind = _KIND[data]
+
+    def per_text(mask: np.ndarray) -> np.ndarray:
+        out, full = np.zeros(n, np.int64), np.diff(offsets) > 0
+        if full.any():
+            out[full] = np.add.reduceat(mask, offsets[:-1][full], dtype=np.int64)
+        return out
+
+    def per_word(mask: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(mask)
+        return np.searchsorted(at, ends) - np.searchsorted(at, starts)
+
     size = np.diff(offsets).astype(float)
     starts, ends, first = tv.word_bounds(data, offsets)
     words = np.diff(first).astype(float)
@@ -50,9 +59,8 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     by = lambda x: np.bincount(owner, x, minlength=n)
     mean = by(length) / np.maximum(words, 1)
     spread = np.sqrt(np.maximum(by(length**2) / np.maximum(words, 1) - mean**2, 0))
-    upper, symbol = upto(kind == 2), upto(kind == 5)
-    capital = (upper[ends] - upper[starts] >= 2).astype(float)
-    marked = (symbol[ends] > symbol[starts]).astype(float)
+    capital = (per_word(kind == 2) >= 2).astype(float)
+    marked = (per_word(kind == 5) > 0).astype(float)
     hashes = tv.span_hashes(tv.fold_ascii(data), starts, ends)
     distinct = lambda values, begin: np.diff(tv.distinct_by_text(values, begin)[1]).astype(float)
     pairs, pair_first = tv.shingle_hashes(hashes, first, 2)

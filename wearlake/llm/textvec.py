@@ -70,6 +70,25 @@ def blocks(column: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, int,
         row = end
 
 
+#: Bytes of a long text that are worked through at once.
+SLICE = 1 << 22
+
+
+def blank_cuts(data: np.ndarray, most: int | None = None) -> list[int]:
+    """Cuts of one text behind blanks, 0 and its size included, about ``most`` bytes apart where there are blanks."""
+    most, cuts = most or SLICE, [0]
+    while len(data) - cuts[-1] > most:
+        at = cuts[-1] + most
+        for reach in (4096, len(data)):
+            blank = np.flatnonzero(data[at : at + reach] == 32)
+            if len(blank):
+                break
+        else:
+            break
+        cuts.append(at + 1 + int(blank[0]))
+    return cuts if cuts[-1] == len(data) else [*cuts, len(data)]
+
+
 def fold_ascii(data: np.ndarray) -> np.ndarray:
     """A copy in which A-Z are a-z."""
     return data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
@@ -126,6 +145,20 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return hash_words(*span_words(data, starts, ends), ends - starts)
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of lower-cased texts, and for each text the index of its first word (n + 1 values).  A long text is worked through in slices."""
+    if len(offsets) == 2 and len(data) > SLICE:
+        cuts, parts = blank_cuts(data), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            part = fold_ascii(data[a:b])
+            parts.append(span_hashes(part, *word_bounds(part, np.array([0, b - a]))[:2]))
+        words = np.concatenate(parts)
+        return words, np.array([0, len(words)])
+    data = fold_ascii(data)
+    starts, ends, first = word_bounds(data, offsets)
+    return span_hashes(data, starts, ends), first
+
+
 def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all n-word shingles, text by text, and for each text the index of its first (n + 1 values).
 
@@ -135,6 +168,8 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.nda
     total = np.zeros(len(words), _U)
     for k in range(min(n, len(words))):
         total[: len(words) - k] += words[k:] * _SHINGLE_WEIGHTS[k]
+    if len(counts) == 1 and counts[0] >= n:  # one text: no index needed
+        return mix64(total[: counts[0] - n + 1]), np.array([0, counts[0] - n + 1])
     full = np.maximum(counts - n + 1, 0)
     short = np.flatnonzero((counts > 0) & (counts < n))
     number = full.copy()
@@ -162,6 +197,4 @@ def distinct_by_text(values: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray,
 
 def word_shingles(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of the n-word shingles of lower-cased texts, ascending in each text."""
-    data = fold_ascii(data)
-    starts, ends, first = word_bounds(data, offsets)
-    return distinct_by_text(*shingle_hashes(span_hashes(data, starts, ends), first, n))
+    return distinct_by_text(*shingle_hashes(*word_hashes(data, offsets), n))

@@ -66,13 +66,20 @@ def feature_hits(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray
 
 
 def sparse_rows(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, feature index, value) of the features in ``keys`` that occur."""
-    kinds, owner, words = feature_hits(data, offsets)
-    pairs = [np.zeros(0, np.int64)]
-    for hashes in kinds if len(keys) else []:
-        slot = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        hit = keys[slot] == hashes
-        pairs.append(owner[hit] * len(keys) + slot[hit])
+    """(text, feature index, value) of the features in ``keys`` that occur.  A long text is worked through in slices."""
+    if len(offsets) == 2 and len(data) > tv.SLICE:
+        cuts = tv.blank_cuts(data)  # no word has a blank
+        slices = [(data[a:b], np.array([0, b - a])) for a, b in zip(cuts[:-1], cuts[1:])]
+    else:
+        slices = [(data, offsets)]
+    pairs, words = [np.zeros(0, np.int64)], np.zeros(len(offsets) - 1, np.int64)
+    for part, own in slices:
+        kinds, owner, n = feature_hits(part, own)
+        words += n
+        for hashes in kinds if len(keys) else []:
+            slot = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            hit = keys[slot] == hashes
+            pairs.append(owner[hit] * len(keys) + slot[hit])
     pair, count = np.unique(np.concatenate(pairs), return_counts=True)
     text, feature = pair // max(len(keys), 1), pair % max(len(keys), 1)
     return text, feature, np.log1p(50.0 * count / np.sqrt(np.maximum(words[text], 1)))
