@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearlake.functions import formats, geo
-from wearlake.operators import assembly, catalog, composites, episodes, folds, images, intervals, labeling, series, validation
+from wearlake.operators import assembly, catalog, composites, episodes, folds, images, intervals, jobs, labeling, series, transcripts, validation
 from wearlake.sources import readers, writers
 
 IMU = "session long, t double, accel_x double, accel_y double, accel_z double, gyro_x double, gyro_y double, gyro_z double"
@@ -387,3 +387,31 @@ def test_prediction_by_place(spark):
 def test_tile_and_position_text(spark):
     row = frame(spark, [(12.34567, -0.0005)], "lat double, lon double").select(geo.tile_name(F.col("lat"), F.col("lon")), formats.path_time(F.lit("2024-03-05 06:07:08").cast("timestamp")), formats.data_url(F.lit(b"ab"))).first()
     assert row[0] == f"tile_{12.34567:.3f}_{-0.0005:.3f}" and row[1] == "2024-03-05-0607" and row[2] == "data:image/jpeg;base64,YWI="
+
+
+def test_tasks_and_records(spark, tmp_path):
+    frames = frame(spark, [(1, k, bytes([k])) for k in range(5)], "session long, frame long, jpeg binary")
+    segs = frame(spark, [(1, 0, 0, 4, 0.5), (1, 1, 4, 90, None)], "session long, segment long, start_frame long, end_frame long, confidence double")
+    labels = frame(spark, [(1, 0, "idle", "general", "x", "y", 0.5)], "session long, segment long, action_type string, scenario string, instruction_hi string, instruction_en string, confidence double")
+    got = {r["segment"]: json.loads(r["task"]) for r in labeling.segment_tasks(segs, frames, labels).collect()}
+    assert got[0]["data"]["frame_index"] == 2 and got[0]["data"]["image"] == "data:image/jpeg;base64,Ag==" and got[0]["predictions"][0]["score"] == 0.5
+    assert got[1]["data"]["frame_index"] == 4 and got[1]["data"]["confidence"] == 0.0 and "predictions" not in got[1]
+    tasks = labeling.frame_tasks(frames.withColumnsRenamed({"session": "session_id", "frame": "frame_index"}))
+    assert json.loads(tasks.first()["task"])["data"]["frame_index"] == 0
+    assert writers.task_batches(tasks, "frame_index", 2).groupBy("batch").count().agg(F.max("count")).first()[0] <= 2
+    parts = frame(spark, [(1, 1, "b", 1.23456, 2.0, None, 0.55555), (1, 0, "a", 0.0, 1.0, "hi", 1.0)], "session long, ord long, text string, start double, end double, language string, confidence double")
+    told = transcripts.transcription(transcripts.records(parts)).first()
+    assert told["text"] == "a b" and told["language"] == "hi" and told["segments"][1]["start"] == 1.235
+    assert series.segment_records(frame(spark, [(0.123456, 2.0)], "confidence double, motion_magnitude double")).first()["confidence"] == 0.1235
+    assert [r["frame"] for r in series.first_rows(frames, ["frame"], 2).collect()] == [0, 1] and series.first_rows(frames, ["frame"], 2, "session").count() == 2
+    writers.write_results(str(tmp_path / "out"), segments=segs, transcription=parts)
+    assert spark.read.json(str(tmp_path / "out" / "segments")).count() == 2
+    writers.write_session_meta(segs, str(tmp_path / "meta"), "2024-01-01")
+    assert spark.read.json(str(tmp_path / "meta")).first()["assembled_at"] == "2024-01-01"
+
+
+def test_jobs(spark):
+    new = jobs.queue_jobs(frame(spark, [("j", "s", 1), ("k", "t", 1)], "job_id string, session_id string, now long"))
+    updates = frame(spark, [("j", 3, "running", None), ("j", 5, None, "down"), ("j", 4, "failed", None), ("x", 9, "done", None)], "job_id string, updated_at long, status string, error string")
+    got = {r["job_id"]: r for r in jobs.advance(new, updates).collect()}
+    assert (got["j"]["status"], got["j"]["error"], got["j"]["updated_at"], got["j"]["stage"]) == ("failed", "down", 5, "queued") and got["k"]["updated_at"] == 1 and len(got) == 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearlake.functions import formats
 from wearlake.functions import text as tx
 from wearlake.operators import intervals
 
@@ -160,3 +161,25 @@ def predictions(df: DataFrame) -> DataFrame:
     item = lambda name, kind, value: F.when(F.coalesce(value, F.lit("")) != "", F.struct(F.lit(name).alias("from_name"), F.lit(kind).alias("type"), value.alias("value")))
     result = F.array_compact(F.array(item("action_type", "choices", F.col("action_type")), item("scenario", "choices", F.col("scenario")), item("instruction_hi", "textarea", F.col("instruction_hi"))))
     return df.withColumn("prediction", F.to_json(F.struct(F.coalesce("confidence", F.lit(0.5)).alias("score"), result.alias("result"))))
+
+
+def frame_tasks(frames: DataFrame) -> DataFrame:
+    """(session_id, frame_index, task) of encoded frames (jpeg): the JSON of a labelling task with the image inside; send it in
+    batches of writers.task_batches."""
+    data = F.struct(formats.data_url(F.col("jpeg")).alias("image"), "session_id", "frame_index")
+    return frames.select("session_id", "frame_index", F.to_json(F.struct(data.alias("data"))).alias("task"))
+
+
+def segment_tasks(segments: DataFrame, frames: DataFrame, labels: DataFrame, part: str = "session") -> DataFrame:
+    """(part, segment, task): one task per segment with its middle frame (jpeg; at most the session's last frame) and, where
+    there is a label at its place, the label as a prediction."""
+    last = frames.groupBy(part).agg(F.max("frame").alias("_last"))
+    middle = F.least(F.floor((F.col("start_frame") + F.col("end_frame")) / 2), F.col("_last")).cast("long")
+    placed = segments.join(last, part).withColumn("frame", middle).join(frames.select(part, "frame", "jpeg"), [part, "frame"], "left")
+    told = with_predictions(placed, labels, part)
+    data = F.struct(
+        formats.data_url(F.col("jpeg")).alias("image"), F.col(part).alias("session_id"), F.col("segment").alias("segment_index"), "start_frame", "end_frame",
+        F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.col("frame").alias("frame_index"),
+    )
+    prediction = F.when(F.col("prediction").isNotNull(), F.array(F.from_json("prediction", "score double, result array<struct<from_name:string,type:string,value:string>>")))
+    return told.select(part, "segment", F.to_json(F.struct(data.alias("data"), prediction.alias("predictions"))).alias("task"))

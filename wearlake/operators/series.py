@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.functions import geo
+from wearlake.functions import formats, geo
 
 
 #: Most elements of a series of numbers that is written out; a damaged number would ask for more.
@@ -190,3 +190,15 @@ def train_share(df: DataFrame, order: list[str], share: float = 0.8, ranges: int
     of = F.create_map(*(F.lit(x) for r, k in first.items() for x in (r, k))) if first else F.create_map(F.lit(0), F.lit(0))
     k = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return ranged.withColumn("split", F.when(k <= of[F.col("_range")], "train").otherwise("val")).drop("_range")
+
+
+def segment_records(segments: DataFrame) -> DataFrame:
+    """Segments as they are written: confidence and magnitude to 4 places."""
+    return segments.withColumns(formats.rounded({"confidence": 4, "motion_magnitude": 4}))
+
+
+def first_rows(df: DataFrame, order: list[str], k: int, part: str | None = None) -> DataFrame:
+    """The first k rows in an order, of all or of each series."""
+    if part is None:
+        return df.orderBy(*order).limit(k)
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(part).orderBy(*order))).filter(F.col("_n") <= k).drop("_n")

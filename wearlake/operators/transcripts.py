@@ -27,3 +27,17 @@ def by_segment(segments: DataFrame, parts: DataFrame, key: list[str], order: str
 def speech_slices(segments: DataFrame, rate: int) -> DataFrame:
     """first_sample and end_sample of segments in seconds, cut to whole numbers, for intervals.block_windows."""
     return segments.withColumns({"first_sample": (F.col("start") * rate).cast("long"), "end_sample": (F.col("end") * rate).cast("long")})
+
+
+def records(parts: DataFrame) -> DataFrame:
+    """Parts as they are written: times to 3 and the confidence to 4 places."""
+    return parts.withColumns(formats.rounded({"start": 3, "end": 3, "confidence": 4}))
+
+
+def transcription(parts: DataFrame, part: str = "session", order: str = "ord") -> DataFrame:
+    """(part, text, language, segments): a session's whole text, its first part's language (? without) and its parts (text,
+    start, end) in order; sessions without parts have no row."""
+    ordered = F.array_sort(F.collect_list(F.struct(order, "text", "start", "end")))
+    whole = parts.groupBy(part).agg(ordered.alias("_p"), F.coalesce(F.min_by("language", order), F.lit("?")).alias("language"))
+    segments = F.transform("_p", lambda x: F.struct(x["text"].alias("text"), x["start"].alias("start"), x["end"].alias("end")))
+    return whole.select(part, F.array_join(F.transform("_p", lambda x: x["text"]), " ").alias("text"), "language", segments.alias("segments"))

@@ -152,6 +152,17 @@ def delete_sessions(df: DataFrame, out: str, sessions: list[str]) -> int:
     return df.filter(gone).count()
 
 
+def write_session_meta(sessions: DataFrame, path: str, at: str) -> None:
+    """The assembled sessions (assembly.assemble) as JSON, with the time of assembly."""
+    write_json(sessions.withColumn("assembled_at", F.lit(at)), path)
+
+
+def write_results(path: str, **tables: DataFrame) -> None:
+    """Results of stages (transcription, segments, validation, ...) as JSON, each in a folder of its name."""
+    for name, df in tables.items():
+        write_json(df, os.path.join(path, name))
+
+
 def task_batches(df: DataFrame, order: str, size: int = 50) -> DataFrame:
     """A batch number per row, ``size`` rows each, through partition-wise numbering without one global sort task."""
     ranked = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
