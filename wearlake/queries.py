@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -467,12 +469,29 @@ def quaternion_integrate(spark, d):
     return folds.orientation(s, tie="event_id").select("session", "event_id", *r6("qx", "qy", "qz", "qw"))
 
 
-@query()
+# a second-order Butterworth high-pass at 0.5 of 100 Hz, run forwards and backwards over a series extended by 9 at both ends
+_K = math.tan(math.pi * 0.01 / 2)
+_B0 = 1 / (1 + math.sqrt(2) * _K + _K * _K)
+_A1, _A2 = 2 * (_K * _K - 1) * _B0, (1 - math.sqrt(2) * _K + _K * _K) * _B0
+_B0, _A1, _A2 = (f"({x!r}::DOUBLE)" for x in (_B0, _A1, _A2))
+_PASS = f"""{_B0} * {{v}} + z1 AS y, -2 * {_B0} * {{v}} - {_A1} * ({_B0} * {{v}} + z1) + z2 AS z1, {_B0} * {{v}} - {_A2} * ({_B0} * {{v}} + z1) AS z2"""
+
+
+@query(f"""WITH RECURSIVE {st.SENSOR}, f AS (SELECT session, event_id, value AS x, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY session) AS n FROM s WINDOW w AS (PARTITION BY session ORDER BY t, event_id)),
+e AS (SELECT session, i, n, x AS v FROM f WHERE n > 9 UNION ALL SELECT a.session, -b.i, a.n, 2 * a.x - b.x FROM f a JOIN f b ON a.session = b.session AND a.i = 0 AND b.i BETWEEN 1 AND 9 WHERE a.n > 9
+ UNION ALL SELECT a.session, 2 * (a.n - 1) - b.i, a.n, 2 * a.x - b.x FROM f a JOIN f b ON a.session = b.session AND a.i = a.n - 1 AND b.i BETWEEN a.n - 10 AND a.n - 2 WHERE a.n > 9),
+u AS (SELECT session, i, n, {_PASS.format(v='v')} FROM (SELECT *, -{_B0} * v AS z1, {_B0} * v AS z2 FROM e WHERE i = -9)
+ UNION ALL SELECT session, i, n, {_PASS.format(v='v')} FROM (SELECT e.session, e.i, e.n, e.v, z1, z2 FROM u JOIN e ON e.session = u.session AND e.i = u.i + 1)),
+r AS (SELECT session, i, {_PASS.format(v='v')} FROM (SELECT session, i, y AS v, -{_B0} * y AS z1, {_B0} * y AS z2 FROM u WHERE i = n + 8)
+ UNION ALL SELECT session, i, {_PASS.format(v='v')} FROM (SELECT u.session, u.i, u.y AS v, r.z1, r.z2 FROM r JOIN u ON u.session = r.session AND u.i = r.i - 1))
+SELECT f.session, event_id, round(coalesce(r.y, x), 6) AS value_hp FROM f LEFT JOIN r ON r.session = f.session AND r.i = f.i""")
 def gravity_highpass(spark, d):
-    return folds.remove_gravity(st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"]).select("session", "event_id", "value_hp")
+    return folds.remove_gravity(st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"]).select("session", "event_id", *r6("value_hp"))
 
 
-@query()
+@query(f"""WITH {st.FRAMES}, h AS (SELECT k, CASE WHEN k = 0 THEN 1e0 ELSE sin(pi() * k / 3) / (pi() * k / 3) END * (SELECT sum(pow(2.5e0 * sqrt(1 - (k / 30e0) * (k / 30e0)), 2 * j) / (factorial(j::INT)::DOUBLE * factorial(j::INT)::DOUBLE)) FROM range(0, 25) t(j)) AS w FROM range(-30, 31) t(k)),
+n AS (SELECT session, count(*) AS n FROM f GROUP BY session), m AS (SELECT session, unnest(range(0, ceil(n / 3e0)::BIGINT)) AS place FROM n)
+SELECT m.session, 16000 AS rate, place, round(sum(value * w) / (SELECT sum(w) FROM h), 6) AS sample FROM m JOIN f ON f.session = m.session AND frame BETWEEN 3 * place - 30 AND 3 * place + 30 JOIN h ON k = 3 * place - frame GROUP BY ALL""")
 def audio_resample(spark, d):
     f = st.frames(spark, d)
     pcm = f.groupBy("session").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")).withColumn("rate", F.lit(48_000))
