@@ -43,12 +43,16 @@ DEFAULT_TEMPLATE = ("कार्य करो", "Perform task")
 HINTS = [("उठाओ", "pick up"), ("रखो", "put down"), ("दो", "give"), ("खोलो", "open"), ("बंद", "close"), ("चलो", "go"), ("स्कैन", "scan"), ("पैसे", "payment"), ("रुको", "wait")]
 # fixed values: embedding vocabulary, in slot order
 VOCABULARY = (
-    "pick place carry deliver move push pull open close turn fold stack sort pour lift put take bring drop grab hold press switch scan pack unpack "
-    "box bag bottle cup plate table chair door shelf drawer container item product package parcel food object tool button handle key phone book "
-    "kitchen warehouse delivery office room counter floor wall aisle corridor entrance exit left right forward back up down inside outside near far "
-    "robot human task action navigation manipulation grasp assembly inspection cleaning driving walking running sitting standing interact avoid detect search "
-    "utha rakh le jao lao karo band kholo daal nikal pakar chalo ruko dhundho dena lena"
-).split()
+    "pick", "place", "carry", "deliver", "move", "push", "pull", "open", "close", "turn", "fold", "stack", "sort",
+    "pour", "lift", "put", "take", "bring", "drop", "grab", "hold", "press", "switch", "scan", "pack", "unpack",
+    "box", "bag", "bottle", "cup", "plate", "table", "chair", "door", "shelf", "drawer", "container", "item",
+    "product", "package", "parcel", "food", "object", "tool", "button", "handle", "key", "phone", "book", "kitchen",
+    "warehouse", "delivery", "office", "room", "counter", "floor", "wall", "aisle", "corridor", "entrance", "exit",
+    "left", "right", "forward", "back", "up", "down", "inside", "outside", "near", "far", "robot", "human", "task",
+    "action", "navigation", "manipulation", "grasp", "assembly", "inspection", "cleaning", "driving", "walking",
+    "running", "sitting", "standing", "interact", "avoid", "detect", "search", "utha", "rakh", "le", "jao", "lao",
+    "karo", "band", "kholo", "daal", "nikal", "pakar", "chalo", "ruko", "dhundho", "dena", "lena",
+)
 DIMENSIONS = 512
 TOKEN = "[a-zA-Zऀ-ॿ]+"
 
