@@ -437,10 +437,12 @@ def _classified(docs: DataFrame, n: int, percent: int, hot: int, pairs_per_posti
     found = jaccard_links(spark, sets, percent, rounds, pairs_per_posting)
     parts = connected_components(_all_links(spark, found))
     discard(both, *found)
-    classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    classes = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "component").select(F.col("node").alias("c_node"), "component_id")
+    classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(parts, "node", "left")
+    smallest = classes.filter("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
+    # a component may hold any share of the nodes, so its name is looked up in several places; a lone node has none to look up
+    salted = smallest.select(F.col("component").alias("key"), "component_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    lookup = classes.withColumns({"key": F.coalesce("component", "node"), "salt": F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")})
+    named = lookup.join(salted, ["key", "salt"], "left").select(F.col("node").alias("c_node"), F.coalesce("component_id", "least").alias("component_id"))
     rows = nodes.join(named, nodes.node == named.c_node, "left")
     return rows.select("id", "node", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
