@@ -19,14 +19,22 @@ TOK = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(TOK)
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "lorem ipsum dolor sit amet " * 4000
-TEXTS = [None, "", " \n ", "It's 'tis we've  a\n\n b", "x<|endoftext|>y", "日本語 ½ Ⅷ 👍🏽 é'd", LONG, "one two three four five six seven", "one two three four five six seven", "ONE two three four five six seven eight", "a b", "A b", "\x00 \x1c z"]
+TEXTS = [
+    None, "", " \n ", "It's 'tis we've  a\n\n b", "x<|endoftext|>y", "日本語 ½ Ⅷ 👍🏽 é'd", LONG,
+    "one two three four five six seven", "one two three four five six seven", "ONE two three four five six seven eight",
+    "a b", "A b", "\x00 \x1c z",
+]
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows_ = [(k, t, None, None if k % 4 == 0 else f"s{k % 3}", None) for k, t in enumerate(TEXTS)] + [(7, TEXTS[7], "en", "s1", 5)]
+    rows_ = [
+        (k, t, None, None if k % 4 == 0 else f"s{k % 3}", None) for k, t in enumerate(TEXTS)
+    ] + [(7, TEXTS[7], "en", "s1", 5)]
     # extra columns with names that results use
-    return spark.createDataFrame(rows_, SCHEMA).selectExpr("*", "1 AS size", "2 AS score", "'z' AS node", "3 AS id", "4 AS part")
+    return spark.createDataFrame(rows_, SCHEMA).selectExpr(
+        "*", "1 AS size", "2 AS score", "'z' AS node", "3 AS id", "4 AS part"
+    )
 
 
 @pytest.fixture(scope="module")
@@ -40,13 +48,17 @@ def _ids(text):
 
 def test_token_counts(docs, empty):
     got = tokencount.token_counts(docs, TOK).toPandas()
-    want = Counter((k, len((t or "").encode()), len(_ids(t)), len(_ids(t)) > 1024) for k, t in [*enumerate(TEXTS), (7, TEXTS[7])])
+    want = Counter(
+        (k, len((t or "").encode()), len(_ids(t)), len(_ids(t)) > 1024) for k, t in [*enumerate(TEXTS), (7, TEXTS[7])]
+    )
     assert Counter(got.itertuples(index=False, name=None)) == want
     assert tokencount.token_counts(empty, TOK).count() == 0
 
 
 def test_token_file_round_trip(spark, docs, empty):
-    for df, texts in ((docs, sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda x: (x[0], x[1] or ""))), (empty, [])):
+    for df, texts in (
+        (docs, sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda x: (x[0], x[1] or ""))), (empty, [])
+    ):
         path = tokenfile.scratch_path(spark)
         tokenfile.write_token_file(df, path, TOK)
         got = [tuple(r) for r in tokenfile.read_token_file(spark, path).orderBy("start").collect()]
@@ -62,7 +74,10 @@ def test_range_coder():
     rng = np.random.default_rng(0)
     repeated = np.tile(rng.integers(0, 50257, 50), 80)
     cases = [rng.zipf(1.3, n).clip(0, 50256) for n in (0, 1, 700, 33, 4096)]
-    cases += [repeated[:3999], np.zeros(4096, int), np.array([7]), np.arange(4096) * 1_000_000, np.array([0, 4294967295] * 9), rng.integers(0, 1 << 32, 4096)]
+    cases += [
+        repeated[:3999], np.zeros(4096, int), np.array([7]), np.arange(4096) * 1_000_000, np.array([0, 4294967295] * 9),
+        rng.integers(0, 1 << 32, 4096),
+    ]
     for blocks in ([], cases[:1], cases, cases * 9):
         coded = rangecoder.encode(blocks, lanes_at_once=4)
         assert all(np.array_equal(a, b) for a, b in zip(blocks, rangecoder.decode(coded, [len(b) for b in blocks])))
@@ -100,11 +115,17 @@ def test_words_that_collide_in_polynomials(spark):
     word = _thue_morse(1024)
     texts = [word, word.translate(str.maketrans("ab", "ba"))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
-    assert [r["n_tokens"] for r in tokencount.token_counts(df, TOK).orderBy("doc_id").collect()] == [len(_ids(t)) for t in texts]
+    assert [
+        r["n_tokens"] for r in tokencount.token_counts(df, TOK).orderBy("doc_id").collect()
+    ] == [len(_ids(t)) for t in texts]
     path = tokenfile.scratch_path(spark)
     tokenfile.write_token_file(df, path, TOK)
-    assert [r["ids"] for r in tokenfile.read_token_file(spark, path).orderBy("doc_id").collect()] == [[*_ids(t), 0] for t in texts]
-    assert [r["ids_crc32"] for r in packing.pack(df, TOK).orderBy("doc_id").collect()] == [zlib.crc32(np.array([*_ids(t), 2], "<u4").tobytes()) for t in texts]
+    assert [
+        r["ids"] for r in tokenfile.read_token_file(spark, path).orderBy("doc_id").collect()
+    ] == [[*_ids(t), 0] for t in texts]
+    assert [
+        r["ids_crc32"] for r in packing.pack(df, TOK).orderBy("doc_id").collect()
+    ] == [zlib.crc32(np.array([*_ids(t), 2], "<u4").tobytes()) for t in texts]
     assert [r["component_id"] for r in jaccard.jaccard_components(df).orderBy("doc_id").collect()] == [0, 1]
 
 
@@ -227,7 +248,9 @@ def test_jaccard(spark, hot, pairs):
             w[rng.integers(0, len(w))] = f"x{rng.integers(0, 50)}"
         texts.append(" ".join(w))
     want, sizes = _components(texts)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).selectExpr("*", "1 AS node", "2 AS token")
+    df = spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"
+    ).repartition(4).selectExpr("*", "1 AS node", "2 AS token")
     got = jaccard.jaccard_components(df, hot=hot, pairs_per_posting=pairs).toPandas().sort_values("doc_id")
     assert got["component_id"].tolist() == want and got["n_shingles"].tolist() == sizes
 
@@ -241,12 +264,20 @@ def test_jaccard_links_and_grid(spark, monkeypatch):
         for _ in range(rng.integers(0, 3)):
             w[rng.integers(0, len(w))] = f"x{rng.integers(0, 9)}"
         texts.append(" ".join(w))
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").split() for t in texts)]
+    sets = [
+        {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+        if w
+        else set()
+        for w in ((t or "").split() for t in texts)
+    ]
     same = lambda x, y: bool(x and y) and 100 * len(x & y) >= 75 * len(x | y)
     want = [sum(same(sets[i], sets[j]) for j in range(len(texts)) if j != i) for i in range(len(texts))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     small = jaccard._candidates
-    monkeypatch.setattr(jaccard, "_candidates", lambda tokens, lists, nodes, percent: small(tokens, lists, nodes, percent, group=5, block=4))
+    monkeypatch.setattr(
+        jaccard, "_candidates",
+        lambda tokens, lists, nodes, percent: small(tokens, lists, nodes, percent, group=5, block=4),
+    )
     members, links = jaccard.jaccard_join(df)
     got = members.toPandas().sort_values("doc_id")
     assert got["n_links"].tolist() == want and got["n_shingles"].tolist() == [len(x) for x in sets]
@@ -257,7 +288,9 @@ def test_jaccard_links_and_grid(spark, monkeypatch):
     names = sorted(k for t, k in first.items() if t)
     assert pairs == {(i, j) for i in names for j in names if i < j and same(sets[i], sets[j])}
     components, _ = _components(texts)
-    assert jaccard.jaccard_components(df, pairs_per_posting=1e9).orderBy("doc_id").toPandas()["component_id"].tolist() == components
+    assert jaccard.jaccard_components(
+        df, pairs_per_posting=1e9
+    ).orderBy("doc_id").toPandas()["component_id"].tolist() == components
 
 
 def test_jaccard_bitmap_bound():
@@ -286,35 +319,54 @@ def test_vectors(spark):
     x[100:200] = x[:100] + rng.normal(size=(100, 16)) * 0.08
     x[200:230] = x[0]
     rows_ = [(k, v.tolist(), k % 2 if k < 200 else 0) for k, v in enumerate(x)]
-    rows_ += [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, x[0].tolist(), None), (904, [1.0, None], 1), (905, [1.0, 2.0], 1), (906, [2.0, 4.0], 1)]
-    got = pqdedup.near_duplicate_vectors(spark.createDataFrame(rows_, "vec_id long, embedding array<double>, label int"), block=64).toPandas().set_index("vec_id").sort_index()
+    rows_ += [
+        (900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, x[0].tolist(), None),
+        (904, [1.0, None], 1), (905, [1.0, 2.0], 1), (906, [2.0, 4.0], 1),
+    ]
+    got = pqdedup.near_duplicate_vectors(
+        spark.createDataFrame(rows_, "vec_id long, embedding array<double>, label int"), block=64
+    ).toPandas().set_index("vec_id").sort_index()
 
     unit = x / np.linalg.norm(x, axis=1)[:, None]
     label = np.array([r[2] for r in rows_[:300]])
     near = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])
     np.fill_diagonal(near, False)
-    assert (got["n_links"].to_numpy()[:300] <= near.sum(axis=1)).all() and got["n_links"][:300].sum() >= 0.9 * near.sum()
+    assert (
+        got["n_links"].to_numpy()[:300] <= near.sum(axis=1)
+    ).all() and got["n_links"][:300].sum() >= 0.9 * near.sum()
     assert (got.loc[[900, 901, 902, 903, 904], "n_links"] == 0).all() and got.loc[906, "component_id"] == 905
     none = pqdedup.near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))
     assert none.count() == 0
 
 
 MESSAGES = [
-    (1, 0, "user", "Hello there, how is the build?\n\nSecond para here."), (1, 1, "assistant", "> Hello there,  how IS the build?\n\nFine thanks."),
-    (1, 3, "user", "On Mon, Bob wrote:\n> Fine thanks.\n>> hello there, how is the build?\nOK"), (1, 4, "user", "plain"), (2, 0, "user", "> fine thanks.\nelsewhere"), (2, 0, "user", "> fine thanks.\nelsewhere"),
-    (2, 70, "user", None), (2, 200, None, "On x wrote:\nno quote"), (None, 1, "user", "> plain"), (3, None, "user", "> plain"), (4, 1, "user", "> unknown\n> \n> second para here.\nyes\r\n> plain"), (4, 0, "a", ""), (4, 129, "a", "> yes\n>\n> > deep\n"),
+    (1, 0, "user", "Hello there, how is the build?\n\nSecond para here."), (
+        1, 1, "assistant", "> Hello there,  how IS the build?\n\nFine thanks."
+    ),
+    (
+        1, 3, "user", "On Mon, Bob wrote:\n> Fine thanks.\n>> hello there, how is the build?\nOK"
+    ), (1, 4, "user", "plain"), (
+        2, 0, "user", "> fine thanks.\nelsewhere"
+    ), (2, 0, "user", "> fine thanks.\nelsewhere"),
+    (2, 70, "user", None), (2, 200, None, "On x wrote:\nno quote"), (None, 1, "user", "> plain"), (3, None, "user", "> plain"), (
+        4, 1, "user", "> unknown\n> \n> second para here.\nyes\r\n> plain"
+    ), (4, 0, "a", ""), (4, 129, "a", "> yes\n>\n> > deep\n"),
 ]
 
 
 def test_quotes_against_sql(spark):
     df = spark.createDataFrame(MESSAGES, "conv_id long, turn long, role string, text string")
     got = quotes.link_quotations(df.selectExpr("*", "1 AS key", "2 AS own", "3 AS passages")).toPandas()
-    assert rows(got) == rows(duck(quotes.SQL, conversations=df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"})))
+    assert rows(got) == rows(
+        duck(quotes.SQL, conversations=df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+    )
     first = got[got.conv_id == 1].sort_values("reply_rank")
     assert first["turn"].tolist() == [0, 1, 3, 4] and first["reply_rank"].tolist() == [0, 1, 2, 3]
     parts = quotes.assembled(quotes.link_quotations(df), 3).toPandas()
     own = parts[parts.conv_id == 1].sort_values("part")["messages"].tolist()
-    assert [[m["turn"] for m in p] for p in own] == [[0, 1, 3], [4]] and parts["messages"].map(len).sum() == got["reply_rank"].notna().sum()
+    assert [
+        [m["turn"] for m in p] for p in own
+    ] == [[0, 1, 3], [4]] and parts["messages"].map(len).sum() == got["reply_rank"].notna().sum()
     reply = got[(got.conv_id == 1) & (got.turn == 3)].iloc[0]
     assert (reply["parent_turn"], reply["n_linked"], reply["text"]) == (1, 2, "OK")
     assert quotes.link_quotations(df.filter("conv_id = 99")).count() == 0
@@ -333,7 +385,9 @@ def _labelled(spark):
             w = [f"{x.upper()}!!" for x in w]
         docs_.append((k, " ".join(w)))
         labels.append((k, int(not bad), int(toxic)))
-    return spark.createDataFrame(docs_, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return spark.createDataFrame(docs_, "doc_id long, text string"), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int"
+    )
 
 
 def test_toxicity(spark, docs, empty):
@@ -341,7 +395,9 @@ def test_toxicity(spark, docs, empty):
     model = toxicity.fit_toxicity(d, labels)
     got = toxicity.score_toxicity(d, model).toPandas()
     assert ((got.doc_id % 5 == 0) == got.toxic).mean() > 0.97 and got["severity"].between(0, 3).all()
-    assert toxicity.score_toxicity(docs, model, keep=True).count() == len(TEXTS) + 1 and toxicity.score_toxicity(empty, model).count() == 0
+    assert toxicity.score_toxicity(
+        docs, model, keep=True
+    ).count() == len(TEXTS) + 1 and toxicity.score_toxicity(empty, model).count() == 0
     bare = toxicity.fit_toxicity(d, labels.filter("toxic = 0"))
     assert not toxicity.score_toxicity(docs, bare).toPandas()["toxic"].any()
 
@@ -351,23 +407,32 @@ def test_quality(spark, docs, empty):
     model = quality.fit_quality(d, labels)
     got = quality.score_quality(d, model).toPandas()
     assert ((got.doc_id % 7 != 0) == (got.predicted == 1)).mean() > 0.97 and got["score"].between(0, 1).all()
-    assert quality.score_quality(docs, model).toPandas()["score"].notna().all() and quality.score_quality(empty, model).count() == 0
+    assert quality.score_quality(docs, model).toPandas()["score"].notna().all() and quality.score_quality(
+        empty, model
+    ).count() == 0
     assert quality.score_quality(docs, quality.fit_quality(d, labels.limit(0))).toPandas()["score"].notna().all()
 
 
 def test_reply_order_of_a_long_conversation(spark):
     rng = np.random.default_rng(3)
-    rows_ = [(1, int(t), "user", f"message {t}" if t % 3 else f"> message {rng.integers(0, max(1, t))}\nand {t}") for t in range(300)]
+    rows_ = [
+        (1, int(t), "user", f"message {t}" if t % 3 else f"> message {rng.integers(0, max(1, t))}\nand {t}")
+        for t in range(300)
+    ]
     df = spark.createDataFrame(rows_, "conv_id long, turn long, role string, text string").repartition(4)
     got = quotes.link_quotations(df).toPandas()
     assert rows(got) == rows(duck(quotes.SQL, conversations=df.toPandas()))
     order = got.sort_values("reply_rank")
-    assert order["reply_rank"].tolist() == list(range(300)) and [(p, t) for p, t in zip(order.parent_turn, order.turn)] == sorted(zip(got.parent_turn, got.turn))
+    assert order["reply_rank"].tolist() == list(range(300)) and [
+        (p, t) for p, t in zip(order.parent_turn, order.turn)
+    ] == sorted(zip(got.parent_turn, got.turn))
 
 
 def _loss(w, theta, text, feature, value, grade, penalty):
     score = np.bincount(text, value * w[feature], minlength=len(grade))
-    above = np.concatenate((np.ones((len(grade), 1)), 1 / (1 + np.exp(theta[None, :] - score[:, None])), np.zeros((len(grade), 1))), axis=1)
+    above = np.concatenate(
+        (np.ones((len(grade), 1)), 1 / (1 + np.exp(theta[None, :] - score[:, None])), np.zeros((len(grade), 1))), axis=1
+    )
     at = np.arange(len(grade))
     return -np.log(above[at, grade] - above[at, grade + 1]).mean() + penalty * (w @ w) / (2 * len(grade))
 
@@ -398,12 +463,19 @@ def test_toxicity_scores_by_formula(spark):
         for w in words:
             raw = np.frombuffer(w.encode(), np.uint8)
             kinds = [textvec.span_hashes(raw, np.array([0]), np.array([len(raw)]))[0]]
-            kinds += [textvec.mix64(textvec.span_hashes(raw, np.array([0]), np.array([min(k, len(raw))])) ^ np.uint64(k))[0] for k in toxicity.PREFIXES]
+            kinds += [
+                textvec.mix64(textvec.span_hashes(raw, np.array([0]), np.array([min(k, len(raw))])) ^ np.uint64(k))[0]
+                for k in toxicity.PREFIXES
+            ]
             counts.update(int(x) for x in kinds)
         place = {int(k): i for i, k in enumerate(model.keys)}
-        score = sum(model.weights[place[k]] * np.log1p(50 * c / np.sqrt(len(words))) for k, c in counts.items() if k in place)
+        score = sum(
+            model.weights[place[k]] * np.log1p(50 * c / np.sqrt(len(words))) for k, c in counts.items() if k in place
+        )
         above = 1 / (1 + np.exp(model.theta - score))
-        assert np.isclose(got[r["doc_id"]]["p_toxic"], above[0]) and np.isclose(got[r["doc_id"]]["severity"], above.sum())
+        assert np.isclose(got[r["doc_id"]]["p_toxic"], above[0]) and np.isclose(
+            got[r["doc_id"]]["severity"], above.sum()
+        )
         assert got[r["doc_id"]]["grade"] == int(np.argmax(np.append(1, above) - np.append(above, 0)))
 
 
@@ -446,20 +518,39 @@ def test_fingerprints_against_all_hashes(spark, docs):
         a, b = a or "", b or ""
         x, e, y = (hashes(t)[: fingerprint.K] for t in (a, a[: len(a) - len(a) // 2] + b[: len(a) // 2], b))
         want.append((k, len(a), x, e, alike(x, e), alike(x, y)))
-    rows_ = [(r.doc_id, r.n_chars, fingerprint.from_string(r.fingerprint).tolist(), fingerprint.from_string(r.edited_fingerprint).tolist(), r.near_edited, r.near_next) for r in got.itertuples()]
+    rows_ = [
+        (
+            r.doc_id, r.n_chars, fingerprint.from_string(r.fingerprint).tolist(),
+            fingerprint.from_string(r.edited_fingerprint).tolist(), r.near_edited, r.near_next,
+        ) for r in got.itertuples()
+    ]
     assert sorted(rows_, key=repr) == sorted(want, key=repr)
 
 
 def test_merging_and_comparing_fingerprints(spark):
     rng = np.random.default_rng(2)
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 400, 120)) for _ in range(9)]
-    df = spark.createDataFrame([(k, k % 2, t) for k, t in enumerate(texts)] + [(9, 1, None)], "doc_id long, part long, text string").repartition(4)
+    df = spark.createDataFrame(
+        [(k, k % 2, t) for k, t in enumerate(texts)] + [(9, 1, None)], "doc_id long, part long, text string"
+    ).repartition(4)
     prints = fingerprint.fingerprints(df).join(df.select("doc_id", "part"), "doc_id")
-    got = {r["part"]: fingerprint.from_string(r["fingerprint"]).tolist() for r in fingerprint.merged_fingerprints(prints, "part").collect()}
+    got = {
+        r["part"]: fingerprint.from_string(r["fingerprint"]).tolist()
+        for r in fingerprint.merged_fingerprints(prints, "part").collect()
+    }
     for p in (0, 1):
         data, offsets = textvec.column_bytes(pa.array([t for k, t in enumerate(texts) if k % 2 == p]))
         assert got[p] == sorted({int(h) >> 16 for h in textvec.word_shingles(data, offsets)[0]})[: fingerprint.K]
-    pairs = spark.createDataFrame([(fingerprint.to_string(np.arange(5, dtype=np.uint64)), fingerprint.to_string(np.arange(3, 9, dtype=np.uint64))), (None, "")], "a string, b string")
+    pairs = spark.createDataFrame(
+        [
+            (
+                fingerprint.to_string(np.arange(5, dtype=np.uint64)),
+                fingerprint.to_string(np.arange(3, 9, dtype=np.uint64)),
+            ),
+            (None, ""),
+        ],
+        "a string, b string",
+    )
     one, none = (tuple(r)[2:] for r in fingerprint.compared(pairs, "a", "b").collect())
     assert np.allclose(one, (2 / 9, 2 / 5, 5, 6)) and none == (None,) * 4
 
@@ -470,9 +561,13 @@ def test_long_texts_in_slices_are_the_same(monkeypatch):
     for t in (text, "a b c", "x" * 900, " " * 700, "one two three four " + " " * 700, ""):
         data, offsets = textvec.column_bytes(pa.array([t]))
         keys = np.unique(np.concatenate(toxicity.feature_hits(data, offsets)[0])) if t else np.zeros(0, np.uint64)
-        whole = fingerprint.sketches(data, offsets)[0], [*toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)]
+        whole = fingerprint.sketches(data, offsets)[0], [
+            *toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)
+        ]
         monkeypatch.setattr(textvec, "SLICE", 256)
-        cut = fingerprint.sketches(data, offsets)[0], [*toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)]
+        cut = fingerprint.sketches(data, offsets)[0], [
+            *toxicity.sparse_rows(data, offsets, keys), *jaccard._sets(data, offsets, 5)
+        ]
         monkeypatch.undo()
         assert np.array_equal(whole[0], cut[0]) and all(np.array_equal(x, y) for x, y in zip(whole[1], cut[1]))
 
@@ -504,15 +599,28 @@ def test_pipeline_keeps_columns_and_drops_repeated_rows(spark):
     import corpus_pipeline as cp
 
     sf = "/root/testdata/sf0.001"
-    base = [(k, "the same words again and again in one text " + "of a kind" * (k % 2), "en", "s", 1) for k in (0, 1, 2, 0, 1, 2)]
-    base += [(5, None, None, None, None), (None, base[0][1], "en", "s", 1), (6, "", "en", "s", 0), (7, "quite another text that stands alone here", "en", "s", 1), (7, base[0][1], "en", "s", 1)]
-    own = spark.createDataFrame(base, SCHEMA).selectExpr("*", "123 AS score", "7 AS predicted", "true AS toxic", "9 AS grade", "-5 AS size", "8 AS taken", "'n' AS node", "4 AS id", "5 AS component_id")
+    base = [
+        (k, "the same words again and again in one text " + "of a kind" * (k % 2), "en", "s", 1)
+        for k in (0, 1, 2, 0, 1, 2)
+    ]
+    base += [
+        (5, None, None, None, None), (None, base[0][1], "en", "s", 1), (6, "", "en", "s", 0),
+        (7, "quite another text that stands alone here", "en", "s", 1), (7, base[0][1], "en", "s", 1),
+    ]
+    own = spark.createDataFrame(base, SCHEMA).selectExpr(
+        "*", "123 AS score", "7 AS predicted", "true AS toxic", "9 AS grade", "-5 AS size", "8 AS taken", "'n' AS node",
+        "4 AS id", "5 AS component_id",
+    )
     kept = cp.drop_near_copies(spark, own, sf)
     want = [(0, base[0][1]), (1, base[1][1]), (5, None), (None, base[0][1]), (6, ""), (7, base[9][1])]
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want) and kept.columns == own.columns
     for _, stage in cp.STAGES[:4]:
         out = stage(spark, own, sf).collect()
-        assert out and all((r["score"], r["predicted"], r["toxic"], r["grade"], r["size"], r["taken"], r["node"], r["id"]) == (123, 7, True, 9, -5, 8, "n", 4) for r in out)
+        assert out and all(
+            (
+                r["score"], r["predicted"], r["toxic"], r["grade"], r["size"], r["taken"], r["node"], r["id"]
+            ) == (123, 7, True, 9, -5, 8, "n", 4) for r in out
+        )
         assert stage(spark, own.filter("false"), sf).count() == 0
     assert cp.STAGES[4][1](spark, own, sf).count() == len(base)
 
@@ -533,12 +641,16 @@ def test_pipeline_stages_against_their_operators(spark):
         words[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
     assert dict(words) == {k: n for k, n in taken.items() if n}
     pieces = cp.pack_sequences(spark, docs_, sf).toPandas()
-    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {r["doc_id"]: len(_ids(r["text"])) + 1 for r in docs_.collect()}
+    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {
+        r["doc_id"]: len(_ids(r["text"])) + 1 for r in docs_.collect()
+    }
 
 
 def test_repeated_ids_among_labelled_rows(spark):
     from wearlake.llm.labelled import class_counts, labelled_sample
 
     d = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d"), (4, "e")], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (3, 0), (None, 1), (9, 0)], "doc_id long, quality int")
+    labels = spark.createDataFrame(
+        [(1, 1), (1, 1), (2, 0), (3, 1), (3, 0), (None, 1), (9, 0)], "doc_id long, quality int"
+    )
     assert labelled_sample(d, labels, "quality", 10).count() == 2 and class_counts(labels, "quality") == (2, 1)

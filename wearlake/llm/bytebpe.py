@@ -41,7 +41,9 @@ def _classes() -> np.ndarray:
         elif kind == "N":
             out[c] = NUMBER
     # white space: the characters with the White_Space property (fixed values)
-    out[[9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
+    out[
+        [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+    ] = SPACE
     return out
 
 
@@ -96,7 +98,9 @@ def pretokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         pad = np.concatenate((byte, np.zeros(3, np.uint8)))
         b1, b2 = pad[quote + 1], pad[quote + 2]
         one = np.isin(b1, np.frombuffer(b"stmd", np.uint8)) & ~first[quote + 1]
-        two = ~first[quote + 1] & ~first[quote + 2] & (((b1 == 114) & (b2 == 101)) | ((b1 == 118) & (b2 == 101)) | ((b1 == 108) & (b2 == 108)))
+        two = ~first[quote + 1] & ~first[quote + 2] & (
+            ((b1 == 114) & (b2 == 101)) | ((b1 == 118) & (b2 == 101)) | ((b1 == 108) & (b2 == 108))
+        )
         for k, width in ((quote[one], 2), (quote[two & ~one], 3)):
             start[k + 1] = False
             inside = k + width
@@ -117,12 +121,16 @@ class _Model:
         self.library = Tokenizer.from_file(path)
         spec = json.loads(self.library.to_str())
         pre, model = spec["pre_tokenizer"], spec["model"]
-        if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre.get("use_regex", True) or spec["normalizer"] or model.get("ignore_merges"):
+        if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre[
+            "add_prefix_space"
+        ] or not pre.get("use_regex", True) or spec["normalizer"] or model.get("ignore_merges"):
             raise ValueError(f"not a plain byte-level BPE file: {path}")
         self.specials = [x["content"].encode() for x in spec["added_tokens"]]
         self.leads = np.zeros(max(model["vocab"].values()) + 1, bool)  # ids whose bytes begin with a blank, which the byte-level alphabet writes as code point 288
         self.leads[[i for t, i in model["vocab"].items() if t[0] == chr(288)]] = True
-        self.vocab, self.merges = model["vocab"], [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
+        self.vocab, self.merges = model["vocab"], [
+            tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]
+        ]
 
 
 @lru_cache(4)
@@ -189,7 +197,10 @@ class _Pieces:
             left = left[self.table[place[left]] != pieces[left]]
             place[left] = place[left] + 1 & len(self.table) - 1
 
-    def append(self, hashes: np.ndarray, words: np.ndarray, begin: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def append(
+        self, hashes: np.ndarray, words: np.ndarray, begin: np.ndarray, data: np.ndarray, starts: np.ndarray,
+        ends: np.ndarray,
+    ) -> np.ndarray:
         """Add pieces; returns their numbers."""
         first = len(self.keys)
         self.keys = np.concatenate((self.keys, hashes))
@@ -224,7 +235,9 @@ class _Pieces:
             self.enter(hashes[pick], added.astype(np.int32))
             slot[new] = self.find(hashes[new])
         number = np.diff(begin)
-        stored = self.words.take(np.repeat(self.begin_words[slot] - begin[:-1], number) + np.arange(len(words)), mode="clip")
+        stored = self.words.take(
+            np.repeat(self.begin_words[slot] - begin[:-1], number) + np.arange(len(words)), mode="clip"
+        )
         wrong = self.sizes[slot] != size
         differing = np.flatnonzero(stored != words)
         if len(differing):
@@ -233,7 +246,12 @@ class _Pieces:
             piece = data[starts[k] : ends[k]].tobytes()
             if piece not in self.odd:
                 own = slice(int(begin[k]), int(begin[k + 1]))
-                self.odd[piece] = int(self.append(hashes[k : k + 1], words[own], np.array([0, own.stop - own.start]), data, starts[k : k + 1], ends[k : k + 1])[0])
+                self.odd[piece] = int(
+                    self.append(
+                        hashes[k : k + 1], words[own], np.array([0, own.stop - own.start]), data, starts[k : k + 1],
+                        ends[k : k + 1],
+                    )[0]
+                )
             slot[k] = self.odd[piece]
         return slot
 
@@ -269,7 +287,12 @@ class LibraryIds(_Pieces):
         alone = sorted(set(range(len(texts))).difference(joins))
         flat, sizes, rows = [], np.zeros(len(texts), np.int64), []
         groups = [joins[k : k + 256] for k in range(0, len(joins), 256)]
-        for own, coded in zip(groups, self.model.library.encode_batch_fast(["".join(texts[k] for k in own) for own in groups], add_special_tokens=False)):
+        for own, coded in zip(
+            groups,
+            self.model.library.encode_batch_fast(
+                ["".join(texts[k] for k in own) for own in groups], add_special_tokens=False
+            ),
+        ):
             ids = np.array(coded.ids, np.uint32)
             heads = np.flatnonzero(self.model.leads[np.minimum(ids, len(self.model.leads) - 1)])
             if len(heads) == len(own):
@@ -280,7 +303,9 @@ class LibraryIds(_Pieces):
                 alone += own
         for k in range(0, len(alone), 20_000):  # encodings of a part at a time are kept
             own = alone[k : k + 20_000]
-            ids = [x.ids for x in self.model.library.encode_batch_fast([texts[i] for i in own], add_special_tokens=False)]
+            ids = [
+                x.ids for x in self.model.library.encode_batch_fast([texts[i] for i in own], add_special_tokens=False)
+            ]
             sizes[own] = np.fromiter(map(len, ids), np.int64, len(ids))
             flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[own].sum())))
             rows += own
@@ -303,7 +328,9 @@ class LibraryIds(_Pieces):
         """Ids of all texts in a row, and the index of each text's first (n + 1 values)."""
         if len(offsets) == 2 and len(data) > SLICE:
             cuts = slices(data)
-            ids = np.concatenate([self._encode(data[a:b], np.array([0, b - a]))[0] for a, b in zip(cuts[:-1], cuts[1:])])
+            ids = np.concatenate(
+                [self._encode(data[a:b], np.array([0, b - a]))[0] for a, b in zip(cuts[:-1], cuts[1:])]
+            )
             return ids, np.array([0, len(ids)])
         return self._encode(data, offsets)
 
@@ -313,7 +340,9 @@ class LibraryIds(_Pieces):
         slot = self.resolve(data, starts, ends) if len(starts) else starts
         size = self.length[slot] if len(starts) else np.zeros(0, np.int64)
         upto = np.concatenate(([0], np.cumsum(size)))
-        ids = self.flat[np.repeat(self.begin[slot] - upto[:-1], size) + np.arange(upto[-1])] if len(starts) else self.flat[:0]
+        ids = self.flat[
+            np.repeat(self.begin[slot] - upto[:-1], size) + np.arange(upto[-1])
+        ] if len(starts) else self.flat[:0]
         begin = upto[first]
         special = self.with_special(data, offsets)
         if special:
@@ -389,7 +418,9 @@ class RankCounter(_Pieces):
         """Tokens of each text."""
         if len(offsets) == 2 and len(data) > SLICE:
             cuts = slices(data)
-            return np.array([sum(int(self._counts(data[a:b], np.array([0, b - a]))[0]) for a, b in zip(cuts[:-1], cuts[1:]))])
+            return np.array(
+                [sum(int(self._counts(data[a:b], np.array([0, b - a]))[0]) for a, b in zip(cuts[:-1], cuts[1:]))]
+            )
         return self._counts(data, offsets)
 
     def _counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

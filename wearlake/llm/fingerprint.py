@@ -108,10 +108,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [to_string(x) for _, _, data, offsets in tv.blocks(batch.column(1)) for x in sketches(data, offsets, k)]
+            rows = [
+                to_string(x) for _, _, data, offsets in tv.blocks(batch.column(1)) for x in sketches(data, offsets, k)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.string())], [id_col, "fingerprint"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fingerprint string")
+    return docs.select(id_col, text_col).mapInArrow(
+        run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fingerprint string"
+    )
 
 
 def compared(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -125,8 +129,14 @@ def compared(pairs: DataFrame, a: str, b: str) -> DataFrame:
             for x, y in zip(batch.column(names.index(a)).to_pylist(), batch.column(names.index(b)).to_pylist()):
                 u, v = (None if t is None else from_string(t) for t in (x, y))
                 known = u is not None and v is not None
-                found.append((resemblance(u, v), containment(u, v), distinct_count(u), distinct_count(v)) if known else (None,) * 4)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([f[k] for f in found], pa.float64()) for k in range(4))], [*names, *added])
+                found.append(
+                    (resemblance(u, v), containment(u, v), distinct_count(u), distinct_count(v))
+                    if known
+                    else (None,) * 4
+                )
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array([f[k] for f in found], pa.float64()) for k in range(4))], [*names, *added]
+            )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema)
     return pairs.mapInArrow(run, f"{kinds}, " + ", ".join(f"{c} double" for c in added))
@@ -147,17 +157,25 @@ def merged_fingerprints(rows: DataFrame, key: str, column: str = "fingerprint")
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, prints = join(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(prints, pa.string())], [key, "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, batch.schema.field(0).type), pa.array(prints, pa.string())], [key, "fingerprint"]
+            )
 
     def whole(table: pa.Table) -> pa.Table:
         keys, prints = join(table.column(0).to_pylist(), table.column(1).to_pylist())
-        return pa.table([pa.array(keys, table.schema.field(0).type), pa.array(prints, pa.string())], names=[key, "fingerprint"])
+        return pa.table(
+            [pa.array(keys, table.schema.field(0).type), pa.array(prints, pa.string())], names=[key, "fingerprint"]
+        )
 
     schema = f"`{key}` {kind}, fingerprint string"
-    return rows.filter(F.col(column).isNotNull()).select(key, column).mapInArrow(part, schema).groupBy(key).applyInArrow(whole, schema)
+    return rows.filter(
+        F.col(column).isNotNull()
+    ).select(key, column).mapInArrow(part, schema).groupBy(key).applyInArrow(whole, schema)
 
 
-def in_order(docs: DataFrame, rows_per_part: int = 1000, most_parts: int = 65_536, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def in_order(
+    docs: DataFrame, rows_per_part: int = 1000, most_parts: int = 65_536, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """(part, sentinel, id, text) sorted inside partitions so that a row's successor by (id, text) is the next row of its part.
 
     Parts are id ranges between percentiles, which are ids that occur; the rows
@@ -190,8 +208,13 @@ def in_order(docs: DataFrame, rows_per_part: int = 1000, most_parts: int = 65_53
                 out[i].append(2 * last + 1)
             yield pd.Series(out, index=x.index)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("place", F.explode(places("id")))
-    rows = rows.select(F.shiftright("place", 1).alias("part"), (F.col("place") % 2).alias("sentinel"), "id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
+    ).withColumn("place", F.explode(places("id")))
+    rows = rows.select(
+        F.shiftright("place", 1).alias("part"), (F.col("place") % 2).alias("sentinel"), "id",
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
     return rows.repartition("part").sortWithinPartitions("part", "sentinel", "id", "text")
 
 
@@ -215,20 +238,31 @@ def edited_fingerprints(docs: DataFrame, k: int = K, id_col: str = "doc_id", tex
             part, sentinel, ids = (batch.column(c).to_pylist() for c in range(3))
             for row, end, data, offsets in tv.blocks(batch.column(3)):
                 texts = batch.column(3).slice(row, end - row).to_pylist()
-                rows = held + list(zip(part[row:end], sentinel[row:end], ids[row:end], texts, sketches(data, offsets, k)))
+                rows = held + list(
+                    zip(part[row:end], sentinel[row:end], ids[row:end], texts, sketches(data, offsets, k))
+                )
                 held = rows[-1:]
                 pairs = [(a, b) for a, b in zip(rows, rows[1:]) if a[0] == b[0] and not a[1]]
                 changed = [a[3][: len(a[3]) - len(a[3]) // 2] + b[3][: len(a[3]) // 2] for a, b in pairs]
-                edited = [x for _, _, d, o in tv.blocks(pa.array(changed, pa.large_string())) for x in sketches(d, o, k)]
+                edited = [
+                    x for _, _, d, o in tv.blocks(pa.array(changed, pa.large_string())) for x in sketches(d, o, k)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([a[2] for a, _ in pairs], pa.int64()), pa.array([len(a[3]) for a, _ in pairs], pa.int64()),
+                        pa.array([a[2] for a, _ in pairs], pa.int64()), pa.array(
+                            [len(a[3]) for a, _ in pairs], pa.int64()
+                        ),
                         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in changed], pa.string()),
-                        pa.array([to_string(a[4]) for a, _ in pairs], pa.string()), pa.array([to_string(x) for x in edited], pa.string()),
+                        pa.array(
+                            [to_string(a[4]) for a, _ in pairs], pa.string()
+                        ), pa.array([to_string(x) for x in edited], pa.string()),
                         pa.array([resemblance(a[4], x, k) for (a, _), x in zip(pairs, edited)], pa.float64()),
                         pa.array([resemblance(a[4], b[4], k) for a, b in pairs], pa.float64()),
                     ],
-                    [id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+                    [
+                        id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+                        "near_next",
+                    ],
                 )
         tv.trim()
 

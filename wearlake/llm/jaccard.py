@@ -54,7 +54,9 @@ def _signatures(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A 63-bit signature of each text's word sequence, from the hashes of all words."""
     size = np.diff(first)
     place = (np.arange(len(words)) - np.repeat(first[:-1], size)).astype(np.uint64)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(tv.mix64(words ^ (place * np.uint64(0x9E3779B97F4A7C15))))))
+    sums = np.concatenate(
+        (np.zeros(1, np.uint64), np.cumsum(tv.mix64(words ^ (place * np.uint64(0x9E3779B97F4A7C15)))))
+    )
     value = tv.mix64((sums[first[1:]] - sums[first[:-1]]) ^ (size.astype(np.uint64) * np.uint64(0xE7037ED1A0B428DB)))
     return (value >> np.uint64(1)).astype(np.int64)
 
@@ -71,7 +73,9 @@ def _binary(arrays: list[np.ndarray]) -> pa.Array:
     return pa.array([x.tobytes() for x in arrays], pa.binary())
 
 
-def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text_col: str, flush_at: int = 1_500_000) -> DataFrame:
+def _postings(
+    docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text_col: str, flush_at: int = 1_500_000
+) -> DataFrame:
     """(bucket, kind, nodes, sizes, counts, low, mid, high) rows: runs of a node's shingles in a bucket.
 
     low, mid and high are a shingle's last 56 bits.  Rows of kind _OFTEN are a
@@ -82,7 +86,9 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text
     shift = np.uint64(64 - (buckets.bit_length() - 1))
     names = ["bucket", "kind", "nodes", "sizes", "counts", "low", "mid", "high"]
 
-    def pack(shingles: np.ndarray, owner: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, key: np.ndarray, kind: int) -> pa.RecordBatch:
+    def pack(
+        shingles: np.ndarray, owner: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, key: np.ndarray, kind: int
+    ) -> pa.RecordBatch:
         order = np.argsort(key, kind="stable")
         shingles, owner, key = shingles[order], owner[order], key[order]
         cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
@@ -92,10 +98,16 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text
             own, value = owner[a:b], shingles[a:b]
             run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
             parts = (nodes[own[run]], sizes[own[run]].astype(np.int32), np.diff(np.append(run, b - a)).astype(np.int32))
-            parts += (value.astype(np.uint32), (value >> np.uint64(32)).astype(np.uint16), (value >> np.uint64(48)).astype(np.uint8))
+            parts += (
+                value.astype(np.uint32), (value >> np.uint64(32)).astype(np.uint16),
+                (value >> np.uint64(48)).astype(np.uint8),
+            )
             for column, x in zip(columns, parts):
                 column.append(x)
-        return pa.RecordBatch.from_arrays([pa.array(key[cut].astype(np.int64)), pa.array(np.full(len(cut), kind, np.int32)), *map(_binary, columns)], names)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key[cut].astype(np.int64)), pa.array(np.full(len(cut), kind, np.int32)), *map(_binary, columns)],
+            names,
+        )
 
     def flush(held: list, salt: int) -> Iterator[pa.RecordBatch]:
         nodes, sizes = np.concatenate([x[0] for x in held]), np.concatenate([x[2] for x in held])
@@ -103,12 +115,16 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text
         owner = np.repeat(np.arange(len(nodes)), sizes)
         key = (shingles >> shift).astype(np.int64)
         ordered = np.sort(shingles)
-        often = ordered[hot - 1 :][ordered[hot - 1 :] == ordered[: len(ordered) - hot + 1]] if len(ordered) >= hot else ordered[:0]
+        often = ordered[hot - 1 :][
+            ordered[hot - 1 :] == ordered[: len(ordered) - hot + 1]
+        ] if len(ordered) >= hot else ordered[:0]
         often = np.unique(often)
         if len(often):
             slot = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
             frequent = often[slot] == shingles
-            yield pack(shingles[frequent], owner[frequent], nodes, sizes, key[frequent] * _SALTS + salt % _SALTS, _OFTEN)
+            yield pack(
+                shingles[frequent], owner[frequent], nodes, sizes, key[frequent] * _SALTS + salt % _SALTS, _OFTEN
+            )
             none = np.zeros(len(often), np.int64)
             yield pack(often, none, np.zeros(1, np.int64), none[:1], (often >> shift).astype(np.int64), _TOLD)
             shingles, owner, key = shingles[~frequent], owner[~frequent], key[~frequent]
@@ -120,12 +136,20 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text
 
         held, waiting, seen, salt = [], 0, set(), TaskContext.get().partitionId()
         for batch in batches:
-            ids, null = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            ids, null = batch.column(0).fill_null(0).to_numpy(), batch.column(0).is_null().to_numpy(
+                zero_copy_only=False
+            )
             for row, end, data, offsets in tv.blocks(batch.column(1)):
                 node, shingles, begin = _sets(data, offsets, n)
                 size = np.diff(begin)
-                whole = [[x] for x in (node, size.astype(np.int32), null[row:end].astype(np.uint8), ids[row:end], node[:0], node[:0])]
-                yield pa.RecordBatch.from_arrays([pa.array([salt % buckets]), pa.array([_ROWS], pa.int32()), *map(_binary, whole)], names)
+                whole = [
+                    [x] for x in (
+                        node, size.astype(np.int32), null[row:end].astype(np.uint8), ids[row:end], node[:0], node[:0]
+                    )
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([salt % buckets]), pa.array([_ROWS], pa.int32()), *map(_binary, whole)], names
+                )
                 new = np.zeros(len(node), bool)
                 for k, x in enumerate(node.tolist()):
                     if size[k] and x not in seen:
@@ -142,7 +166,9 @@ def _postings(docs: DataFrame, n: int, buckets: int, hot: int, id_col: str, text
         tv.trim()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "bucket long, kind int, nodes binary, sizes binary, counts binary, low binary, mid binary, high binary")
+    return rows.mapInArrow(
+        run, "bucket long, kind int, nodes binary, sizes binary, counts binary, low binary, mid binary, high binary"
+    )
 
 
 def _shared(postings: DataFrame, buckets: int) -> DataFrame:
@@ -154,10 +180,18 @@ def _shared(postings: DataFrame, buckets: int) -> DataFrame:
         key, kind = table.column("bucket")[0].as_py(), table.column("kind").to_numpy()
         if kind[0] == _ROWS:
             empty = pa.array([b""] * len(table), pa.binary())
-            return pa.table([pa.array(np.full(len(table), -1 - key)), *(table.column(c).combine_chunks() for c in ("nodes", "sizes", "counts", "low")), empty], names=["place", "nodes", "sizes", "counts", "shingles", "ranks"])
+            return pa.table(
+                [
+                    pa.array(np.full(len(table), -1 - key)),
+                    *(table.column(c).combine_chunks() for c in ("nodes", "sizes", "counts", "low")), empty,
+                ],
+                names=["place", "nodes", "sizes", "counts", "shingles", "ranks"],
+            )
         salted = bool(kind[0] == _OFTEN)
         top = np.uint64((key // _SALTS if salted else key) >> (bits - 8)) << np.uint64(56)
-        read = lambda name, dtype, rows: [np.frombuffer(x.as_py(), dtype) for x, r in zip(table.column(name), rows) if r]
+        read = lambda name, dtype, rows: [
+            np.frombuffer(x.as_py(), dtype) for x, r in zip(table.column(name), rows) if r
+        ]
         join = lambda parts, dtype: np.concatenate(parts) if parts else np.zeros(0, dtype)
 
         def shingles(rows: np.ndarray) -> np.ndarray:
@@ -167,7 +201,9 @@ def _shared(postings: DataFrame, buckets: int) -> DataFrame:
 
         own = kind != _TOLD
         value, told = shingles(own), np.unique(shingles(~own))
-        node, size, count = (join(read(name, t, own), t) for name, t in (("nodes", np.int64), ("sizes", np.int32), ("counts", np.int32)))
+        node, size, count = (
+            join(read(name, t, own), t) for name, t in (("nodes", np.int64), ("sizes", np.int32), ("counts", np.int32))
+        )
         node, size = np.repeat(node, count), np.repeat(size, count)
         order = np.lexsort((node, value))
         value, node, size = value[order], node[order], size[order]
@@ -191,12 +227,23 @@ def _shared(postings: DataFrame, buckets: int) -> DataFrame:
         columns: list[list[np.ndarray]] = [[], [], [], [], []]
         for a, b in zip(cut.tolist(), stop.tolist()):
             run_at = np.flatnonzero(np.concatenate(([True], node[a + 1 : b] != node[a : b - 1])))
-            for column, x in zip(columns, (node[a:b][run_at], size[a:b][run_at], np.diff(np.append(run_at, b - a)).astype(np.int32), value[a:b], rank[a:b].astype(np.int32))):
+            for column, x in zip(
+                columns,
+                (
+                    node[a:b][run_at], size[a:b][run_at], np.diff(np.append(run_at, b - a)).astype(np.int32),
+                    value[a:b], rank[a:b].astype(np.int32),
+                ),
+            ):
                 column.append(x)
-        return pa.table([pa.array(place[cut]), *map(_binary, columns)], names=["place", "nodes", "sizes", "counts", "shingles", "ranks"])
+        return pa.table(
+            [pa.array(place[cut]), *map(_binary, columns)],
+            names=["place", "nodes", "sizes", "counts", "shingles", "ranks"],
+        )
 
     group = F.expr(f"case when kind in ({_OFTEN}, {_ROWS}) then kind else {_PLAIN} end")
-    return postings.groupBy("bucket", group.alias("group")).applyInArrow(run, "place long, nodes binary, sizes binary, counts binary, shingles binary, ranks binary")
+    return postings.groupBy("bucket", group.alias("group")).applyInArrow(
+        run, "place long, nodes binary, sizes binary, counts binary, shingles binary, ranks binary"
+    )
 
 
 def prefix_choice(size: int, alone: int, rank: np.ndarray, percent: int, most: int = 4) -> tuple[int, int]:
@@ -229,7 +276,10 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
         node, size = read("nodes", np.int64), read("sizes", np.int32)
         if table.column("place")[0].as_py() < 0:
             none = pa.nulls(len(node), kinds[4])
-            columns = [pa.array(read("shingles", np.int64), mask=read("counts", np.uint8) > 0), pa.array(node, mask=size == 0), pa.array(size), pa.array(np.zeros(len(node), np.int32)), none, pa.nulls(len(node), kinds[5])]
+            columns = [
+                pa.array(read("shingles", np.int64), mask=read("counts", np.uint8) > 0), pa.array(node, mask=size == 0),
+                pa.array(size), pa.array(np.zeros(len(node), np.int32)), none, pa.nulls(len(node), kinds[5]),
+            ]
             return pa.table(columns, names=names)
         count, value, rank = read("counts", np.int32), read("shingles", np.uint64), read("ranks", np.int32)
         node, size = np.repeat(node, count), np.repeat(size, count)
@@ -243,28 +293,43 @@ def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(node)).tolist()):
             l, length = prefix_choice(int(size[a]), int(size[a]) - (b - a), rank[a:b].astype(np.int64), percent)
             if length:
-                rows.append((None, int(node[a]), int(size[a]), l, value[a : a + length].view(np.int64), np.sort(value[a:b]).tobytes()))
+                rows.append(
+                    (
+                        None, int(node[a]), int(size[a]), l, value[a : a + length].view(np.int64),
+                        np.sort(value[a:b]).tobytes(),
+                    )
+                )
         return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
 
-    return shared.groupBy("place").applyInArrow(run, "id long, node long, size int, l int, prefix array<long>, shingles binary")
+    return shared.groupBy("place").applyInArrow(
+        run, "id long, node long, size int, l int, prefix array<long>, shingles binary"
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows (a, b, a_comp, b_comp) of ``pairs`` whose sets have 100 * |a & b| >= percent * |a | b|."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("shingles").alias(f"{c}_set"))
-    both = pairs.select("a", "b", "a_comp", "b_comp").join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_comp", "b_comp", "a_size", "b_size", "a_set", "b_set")
+    side = lambda c: sets.select(
+        F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("shingles").alias(f"{c}_set")
+    )
+    both = pairs.select("a", "b", "a_comp", "b_comp").join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", "a_comp", "b_comp", "a_size", "b_size", "a_set", "b_set"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a_size, b_size = (batch.column(k).to_numpy() for k in (4, 5))
             keep = np.zeros(len(a_size), bool)
             for i, (x, y) in enumerate(zip(batch.column(6), batch.column(7))):
-                joint = np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
+                joint = np.concatenate(
+                    (np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                )
                 joint.sort()
                 same = int(np.count_nonzero(joint[1:] == joint[:-1]))
                 keep[i] = 100 * same >= percent * (int(a_size[i]) + int(b_size[i]) - same)
             mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(mask) for k in range(4)], ["a", "b", "a_comp", "b_comp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).filter(mask) for k in range(4)], ["a", "b", "a_comp", "b_comp"]
+            )
 
     return both.mapInArrow(run, "a long, b long, a_comp long, b_comp long")
 
@@ -296,11 +361,15 @@ def differing(maps: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarra
         left, right = row[: len(at)], row[len(at) :]
         step = max(1, (1 << 20) // words)
         for k in range(0, len(at), step):
-            out[at[k : k + step]] = np.bitwise_count(bits[left[k : k + step]] ^ bits[right[k : k + step]]).sum(axis=1, dtype=np.int64)
+            out[at[k : k + step]] = np.bitwise_count(
+                bits[left[k : k + step]] ^ bits[right[k : k + step]]
+            ).sum(axis=1, dtype=np.int64)
     return out
 
 
-def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 600, block: int = 512) -> DataFrame:
+def _candidates(
+    tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: int, group: int = 600, block: int = 512
+) -> DataFrame:
     """All pairs of different components that share enough prefix shingles and whose sizes and bitmaps allow a link.
 
     |a & b| is at most the number of shingles that either node shares with any
@@ -316,14 +385,26 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
     """
     long = lists.filter(F.col("n") > 2 * block).select("token", F.ceil(F.col("n") / block).cast("long").alias("b"))
     leader = F.when(F.col("n") > group, F.col("token")).otherwise(F.col("x.node"))
-    short = lists.filter(F.col("n") <= 2 * block).select("token", leader.alias("leader"), F.when(F.col("n") <= group, F.col("n")).otherwise(0).alias("n"))
+    short = lists.filter(F.col("n") <= 2 * block).select(
+        "token", leader.alias("leader"), F.when(F.col("n") <= group, F.col("n")).otherwise(0).alias("n")
+    )
     totals = short.groupBy("leader").agg(F.greatest(F.ceil(F.sum("n") / group), F.lit(1)).alias("parts"))
-    dealt = short.join(totals, "leader").select("token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part"))
+    dealt = short.join(totals, "leader").select(
+        "token", "leader", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part")
+    )
     fields = ("token", "node", "size", "l", "shared", "comp")
     plain = tokens.join(dealt, "token").select("leader", "part", *fields, F.lit(0).alias("side"))
     own = F.pmod(F.xxhash64("node"), F.col("b"))
-    cell = F.transform(F.sequence(F.lit(0).cast("long"), F.col("b") - 1), lambda k: F.struct((-1 - (F.least(own, k) * F.col("b") + F.greatest(own, k))).alias("part"), F.when(own < k, 1).when(own > k, 2).otherwise(0).alias("side")))
-    grid = tokens.join(long, "token").select(*fields, F.explode(cell).alias("cell")).select(F.col("token").alias("leader"), "cell.part", *fields, "cell.side")
+    cell = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("b") - 1),
+        lambda k: F.struct(
+            (-1 - (F.least(own, k) * F.col("b") + F.greatest(own, k))).alias("part"),
+            F.when(own < k, 1).when(own > k, 2).otherwise(0).alias("side"),
+        ),
+    )
+    grid = tokens.join(long, "token").select(*fields, F.explode(cell).alias("cell")).select(
+        F.col("token").alias("leader"), "cell.part", *fields, "cell.side"
+    )
 
     def run(table: pa.Table, parity: pa.Table) -> pa.Table:
         get = lambda name: table.column(name).to_numpy()
@@ -332,7 +413,10 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
         name, vertex = np.unique(get("node")[order], return_inverse=True)
         _, at = np.unique(vertex, return_index=True)
         v_size, v_l, v_comp, v_shared, v_side = size[at].astype(np.int64), l[at], comp[at], shared[at].astype(np.int64), side[at]
-        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in parity.column("bits").take(np.argsort(parity.column("member").to_numpy()))]
+        maps = [
+            np.frombuffer(x.as_buffer(), np.uint64)
+            for x in parity.column("bits").take(np.argsort(parity.column("member").to_numpy()))
+        ]
         cut = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
         key, count, held, waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
 
@@ -340,7 +424,9 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
             nonlocal key, count, held, waiting
             new, n = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
             i, j = new >> 32, new & 0xFFFFFFFF
-            close = (100 + percent) * (v_shared[i] + v_shared[j] - differing(maps, i, j)) >= 2 * percent * (v_size[i] + v_size[j])
+            close = (100 + percent) * (
+                v_shared[i] + v_shared[j] - differing(maps, i, j)
+            ) >= 2 * percent * (v_size[i] + v_size[j])
             new, n = new[close], n[close]
             both = np.concatenate((key, new))
             key, inverse = np.unique(both, return_inverse=True)
@@ -351,7 +437,11 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
             own = np.sort(vertex[first:end])
             for k in range(0, len(own), 512):  # a long list in strips
                 left, right = own[k : k + 512, None], own[None, k:]
-                fits = (left < right) & (v_comp[left] != v_comp[right]) & ((100 + percent) * np.minimum(v_shared[left], v_shared[right]) >= percent * (v_size[left] + v_size[right]))
+                fits = (left < right) & (v_comp[left] != v_comp[right]) & (
+                    (100 + percent) * np.minimum(
+                        v_shared[left], v_shared[right]
+                    ) >= percent * (v_size[left] + v_size[right])
+                )
                 fits &= (v_side[left] == 0) | (v_side[left] != v_side[right])  # of two blocks only pairs of one with the other
                 i, j = np.nonzero(fits)
                 held.append(own[k : k + 512][i].astype(np.int64) << 32 | own[k:][j])
@@ -360,17 +450,28 @@ def _candidates(tokens: DataFrame, lists: DataFrame, sets: DataFrame, percent: i
                     settle()
         settle()
         i, j = key >> 32, key & 0xFFFFFFFF
-        columns = [pa.array(name[i]), pa.array(name[j]), pa.array(v_comp[i]), pa.array(v_comp[j]), pa.array(count), pa.array(np.minimum(v_l[i], v_l[j]).astype(np.int32))]
+        columns = [
+            pa.array(name[i]), pa.array(name[j]), pa.array(v_comp[i]), pa.array(v_comp[j]), pa.array(count),
+            pa.array(np.minimum(v_l[i], v_l[j]).astype(np.int32)),
+        ]
         return pa.table(columns, names=["a", "b", "a_comp", "b_comp", "n", "l"])
 
     members = plain.unionByName(grid)
     parity = members.select("leader", "part", "node").distinct().join(_bitmaps(sets), "node")
-    parity = parity.select(F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("node").alias("member"), "bits")
-    groups = members.groupBy("leader", "part").cogroup(parity.groupBy("of", "of_part")).applyInArrow(run, "a long, b long, a_comp long, b_comp long, n long, l int")
-    return groups.groupBy("a", "b", "a_comp", "b_comp").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l")
-
-
-def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4) -> list[DataFrame]:
+    parity = parity.select(
+        F.col("leader").alias("of"), F.col("part").alias("of_part"), F.col("node").alias("member"), "bits"
+    )
+    groups = members.groupBy("leader", "part").cogroup(parity.groupBy("of", "of_part")).applyInArrow(
+        run, "a long, b long, a_comp long, b_comp long, n long, l int"
+    )
+    return groups.groupBy("a", "b", "a_comp", "b_comp").agg(
+        F.sum("n").alias("n"), F.min("l").alias("l")
+    ).filter("n >= l")
+
+
+def jaccard_links(
+    spark: SparkSession, sets: DataFrame, percent: int, rounds: int = 3, pairs_per_posting: float = 4
+) -> list[DataFrame]:
     """Written tables of links (a, b) that together give the components of the full join over the nodes of ``sets``;
     without ``rounds`` all its links.
 
@@ -384,15 +485,24 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
     smallest; lists inside one component are settled and go.
     """
     shared = F.expr("cast(octet_length(shingles) div 8 as int)")
-    tokens = sets.select("node", "size", "l", shared.alias("shared"), F.col("node").alias("comp"), F.explode("prefix").alias("token"))
+    tokens = sets.select(
+        "node", "size", "l", shared.alias("shared"), F.col("node").alias("comp"), F.explode("prefix").alias("token")
+    )
     found, kept, merged = [], None, None
     for turn in range(rounds + 1):
         # another member of a component leads in each round, the same one in most lists of a group
         draw = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
         end = F.struct("comp", draw.alias("draw"), "node", "size", "shared")
-        lists = tokens.groupBy("token").agg(F.count("*").alias("n"), F.min(end).alias("low"), F.max(end).alias("high"), F.min_by(end, F.struct(1 - F.col("shared") / F.col("size"), "node")).alias("close"))
-        x, y = (F.col("low"), F.col("high")) if turn else (F.col("close"), F.when(F.col("close.comp") < F.col("high.comp"), F.col("high")).otherwise(F.col("low")))
-        lists = materialise(lists.filter("low.comp < high.comp").select("token", "n", x.alias("x"), y.alias("y")), "lists")
+        lists = tokens.groupBy("token").agg(
+            F.count("*").alias("n"), F.min(end).alias("low"), F.max(end).alias("high"),
+            F.min_by(end, F.struct(1 - F.col("shared") / F.col("size"), "node")).alias("close"),
+        )
+        x, y = (F.col("low"), F.col("high")) if turn else (
+            F.col("close"), F.when(F.col("close.comp") < F.col("high.comp"), F.col("high")).otherwise(F.col("low"))
+        )
+        lists = materialise(
+            lists.filter("low.comp < high.comp").select("token", "n", x.alias("x"), y.alias("y")), "lists"
+        )
         todo = lists.agg(F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
         if todo[0] and (turn == rounds or todo[1] <= pairs_per_posting * todo[0]):
             found.append(materialise(_verified(_candidates(tokens, lists, sets, percent), sets, percent), "links"))
@@ -402,52 +512,83 @@ def jaccard_links(spark: SparkSession, sets: DataFrame, percent: int, rounds: in
         now = materialise(tokens.join(lists.select("token", "x", "y"), "token"), "tokens")
         discard(lists, kept, merged)
         kept = now
-        votes = kept.select("node", "size", "shared", "comp", F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"))
-        votes = votes.filter(F.least("shared", "to.shared") * (100 + percent) >= (F.col("size") + F.col("to.size")) * percent)
-        votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(F.max(F.struct("n", "to")).alias("best"))
+        votes = kept.select(
+            "node", "size", "shared", "comp",
+            F.when(F.col("comp") != F.col("x.comp"), F.col("x")).otherwise(F.col("y")).alias("to"),
+        )
+        votes = votes.filter(
+            F.least("shared", "to.shared") * (100 + percent) >= (F.col("size") + F.col("to.size")) * percent
+        )
+        votes = votes.groupBy("node", "comp", "to").agg(F.count("*").alias("n")).groupBy("node", "comp").agg(
+            F.max(F.struct("n", "to")).alias("best")
+        )
         node, to = F.col("node"), F.col("best.to.node")
         pairs = votes.select(
             F.least(node, to).alias("a"), F.greatest(node, to).alias("b"),
-            F.when(node < to, F.col("comp")).otherwise(F.col("best.to.comp")).alias("a_comp"), F.when(node < to, F.col("best.to.comp")).otherwise(F.col("comp")).alias("b_comp"),
+            F.when(node < to, F.col("comp")).otherwise(F.col("best.to.comp")).alias("a_comp"), F.when(
+                node < to, F.col("best.to.comp")
+            ).otherwise(F.col("comp")).alias("b_comp"),
         ).distinct()
         found.append(materialise(_verified(pairs, sets, percent), "links"))
         merged = connected_components(found[-1], "a_comp", "b_comp")
-        later = merged.filter("node <> component").select(F.col("node").alias("comp"), F.col("component").alias("to_comp"))
-        tokens = kept.join(later, "comp", "left").select("node", "size", "l", "shared", F.coalesce("to_comp", "comp").alias("comp"), "token")
+        later = merged.filter("node <> component").select(
+            F.col("node").alias("comp"), F.col("component").alias("to_comp")
+        )
+        tokens = kept.join(later, "comp", "left").select(
+            "node", "size", "l", "shared", F.coalesce("to_comp", "comp").alias("comp"), "token"
+        )
         release(spark)
     return found
 
 
-def _written_sets(docs: DataFrame, n: int, percent: int, hot: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _written_sets(
+    docs: DataFrame, n: int, percent: int, hot: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Written tables: sets (node, size, l, prefix, shingles) and documents (id, node, n_shingles); the first holds both, to be discarded."""
     spark = docs.sparkSession
     buckets = _LEAST_BUCKETS
     while buckets < min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 15):
         buckets *= 2
     both = materialise(_prefixes(_shared(_postings(docs, n, buckets, hot, id_col, text_col), buckets), percent), "sets")
-    nodes = materialise(both.filter("l = 0").select("id", "node", F.col("size").cast("long").alias("n_shingles")), "nodes")
+    nodes = materialise(
+        both.filter("l = 0").select("id", "node", F.col("size").cast("long").alias("n_shingles")), "nodes"
+    )
     release(spark)
     return both, both.filter("l > 0").drop("id"), nodes
 
 
-def _classified(docs: DataFrame, n: int, percent: int, hot: int, pairs_per_posting: float, rounds: int, id_col: str, text_col: str) -> DataFrame:
+def _classified(
+    docs: DataFrame, n: int, percent: int, hot: int, pairs_per_posting: float, rounds: int, id_col: str, text_col: str
+) -> DataFrame:
     """(id, node, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
     both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
     found = jaccard_links(spark, sets, percent, rounds, pairs_per_posting)
     parts = connected_components(_all_links(spark, found))
     discard(both, *found)
-    classes = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(parts, "node", "left")
+    classes = nodes.filter("node is not null").groupBy("node").agg(
+        F.min("id").alias("least")
+    ).join(parts, "node", "left")
     smallest = classes.filter("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
     # a component may hold any share of the nodes, so its name is looked up in several places; a lone node has none to look up
-    salted = smallest.select(F.col("component").alias("key"), "component_id", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    lookup = classes.withColumns({"key": F.coalesce("component", "node"), "salt": F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")})
-    named = lookup.join(salted, ["key", "salt"], "left").select(F.col("node").alias("c_node"), F.coalesce("component_id", "least").alias("component_id"))
+    salted = smallest.select(
+        F.col("component").alias("key"), "component_id",
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"),
+    )
+    lookup = classes.withColumns(
+        {"key": F.coalesce("component", "node"), "salt": F.pmod(F.xxhash64("node"), F.lit(_SALTS)).cast("int")}
+    )
+    named = lookup.join(salted, ["key", "salt"], "left").select(
+        F.col("node").alias("c_node"), F.coalesce("component_id", "least").alias("component_id")
+    )
     rows = nodes.join(named, nodes.node == named.c_node, "left")
     return rows.select("id", "node", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(
+    docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, pairs_per_posting: float = 4, rounds: int = 3,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 
     Words are lower-cased (A-Z); a set holds the distinct n-word shingles, with
@@ -473,12 +614,18 @@ def _with_nodes(docs: DataFrame, n: int, text_col: str) -> DataFrame:
                 words, first = tv.word_hashes(data, offsets)
                 nodes.append(_signatures(words, first))
                 empty.append(np.diff(first) == 0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, "_node"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, "_node"]
+            )
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _node long")
+    return docs.mapInArrow(
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _node long"
+    )
 
 
-def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One document of each component of ``jaccard_components`` that has words and ids: the row of the smallest id.
 
     Rows with a null id and rows without words stay as they are.  Of rows with
@@ -490,11 +637,15 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str
     if known.groupBy("id").count().filter("count > 1").isEmpty():
         return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
     # ids occur several times: a row is told by its id and its words
-    firsts = known.filter("node is not null and id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.node").alias("_first"))
+    firsts = known.filter("node is not null and id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("first")).select(
+        F.col("first.id").alias("_id"), F.col("first.node").alias("_first")
+    )
     tagged = _with_nodes(docs, n, text_col)
     apart = F.col(id_col).isNull() | F.col("_node").isNull()
     kept = tagged.filter(~apart).join(firsts, (F.col(id_col) == F.col("_id")) & (F.col("_node") == F.col("_first")))
-    kept = kept.withColumn("_place", F.row_number().over(Window.partitionBy("_id", "_first").orderBy(F.lit(0)))).filter("_place = 1")
+    kept = kept.withColumn(
+        "_place", F.row_number().over(Window.partitionBy("_id", "_first").orderBy(F.lit(0)))
+    ).filter("_place = 1")
     return kept.select(*docs.columns).unionByName(tagged.filter(apart).select(*docs.columns))
 
 
@@ -505,7 +656,9 @@ def _all_links(spark: SparkSession, found: list[DataFrame]) -> DataFrame:
     return out
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def jaccard_join(
+    docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, DataFrame]:
     """All links of the join of ``jaccard_components``, none left out: (members, links).
 
     members has one row per document: id, n_shingles, class_id (the smallest id
@@ -518,12 +671,24 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 75, hot: int = 1024
     both, sets, nodes = _written_sets(docs, n, percent, hot, id_col, text_col)
     found = jaccard_links(spark, sets, percent, 0)
     pairs = _all_links(spark, found).distinct()
-    named = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
-    side = lambda c: named.select(F.col("node").alias(c), F.col("class_id").alias(f"{c}_class"), F.col("copies").alias(f"{c}_copies"))
-    links = materialise(pairs.join(side("a"), "a").join(side("b"), "b").filter("a_class is not null and b_class is not null"), "class-links")
+    named = nodes.filter("node is not null").groupBy("node").agg(
+        F.min("id").alias("class_id"), F.count("*").alias("copies")
+    )
+    side = lambda c: named.select(
+        F.col("node").alias(c), F.col("class_id").alias(f"{c}_class"), F.col("copies").alias(f"{c}_copies")
+    )
+    links = materialise(
+        pairs.join(side("a"), "a").join(side("b"), "b").filter("a_class is not null and b_class is not null"),
+        "class-links",
+    )
     discard(both, *found)
     ends = links.select(F.col("a").alias("node"), F.col("b_copies").alias("n")).union(links.select("b", "a_copies"))
     others = ends.groupBy("node").agg(F.sum("n").alias("others"))
-    counted = named.join(others, "node", "left").select(F.col("node").alias("c_node"), "class_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    members = nodes.join(counted, nodes.node == counted.c_node, "left").select(F.col("id").alias(id_col), "n_shingles", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    counted = named.join(others, "node", "left").select(
+        F.col("node").alias("c_node"), "class_id",
+        (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
+    members = nodes.join(counted, nodes.node == counted.c_node, "left").select(
+        F.col("id").alias(id_col), "n_shingles", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
     return members, links.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b"))

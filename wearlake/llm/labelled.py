@@ -13,7 +13,9 @@ def _settled(labels: DataFrame, target: str, keep: Column | None) -> DataFrame:
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1))
     if keep is not None:
         rows = rows.filter(keep)
-    return rows.groupBy("doc_id").agg(F.min(target).cast("int").alias("y"), F.max(target).cast("int").alias("z")).filter("y = z").drop("z")
+    return rows.groupBy("doc_id").agg(
+        F.min(target).cast("int").alias("y"), F.max(target).cast("int").alias("z")
+    ).filter("y = z").drop("z")
 
 
 def class_counts(labels: DataFrame, target: str, keep: Column | None = None) -> tuple[int, int]:
@@ -22,7 +24,9 @@ def class_counts(labels: DataFrame, target: str, keep: Column | None = None) ->
     return n.get(0, 0), n.get(1, 0)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, keep: Column | None = None) -> DataFrame:
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, target: str, per_class: int, keep: Column | None = None
+) -> DataFrame:
     """(text, y) of at most ``per_class`` labelled documents of each class 0 and 1, written to the shared folder.
 
     Rows are taken in the order of a hash of their id, so the same labels give
@@ -32,8 +36,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, per_class:
     """
     rows = _settled(labels, target, keep)
     order = (F.xxhash64(F.col("doc_id")), F.col("doc_id"))
-    ids = rows.filter("y = 1").orderBy(*order).limit(per_class).union(rows.filter("y = 0").orderBy(*order).limit(per_class))
+    ids = rows.filter("y = 1").orderBy(*order).limit(per_class).union(
+        rows.filter("y = 0").orderBy(*order).limit(per_class)
+    )
     # at most 2 * per_class rows of two numbers: a proven bound for the broadcast
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-    one = found.groupBy("doc_id").agg(F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    one = found.groupBy("doc_id").agg(
+        F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    )
     return materialise(one.select("text", "y"), "labelled")

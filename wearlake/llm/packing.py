@@ -24,7 +24,9 @@ from wearlake.llm import textvec as tv
 from wearlake.llm.runtime import materialise
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Pieces of every whole document: id, piece, start, length, ids_crc32, and (part, number): the piece's number among
     those of its length in its partition.  A document is its ids and ``end_id``; the first piece takes the remainder."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -56,7 +58,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                 order = np.argsort(length, kind="stable")
                 sorted_length = length[order]
                 number = np.empty(len(length), np.int64)
-                number[order] = np.arange(len(length)) - np.searchsorted(sorted_length, sorted_length) + seen[sorted_length]
+                number[order] = np.arange(len(length)) - np.searchsorted(
+                    sorted_length, sorted_length
+                ) + seen[sorted_length]
                 seen += np.bincount(length, minlength=capacity + 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(row + doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
@@ -65,7 +69,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
                 )
         tv.trim()
 
-    return docs.select(id_col, text_col).mapInArrow(cut, f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long, part int, number long")
+    return docs.select(id_col, text_col).mapInArrow(
+        cut, f"`{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long, part int, number long"
+    )
 
 
 def patterns(histogram: np.ndarray, per_length: int = 10) -> list[tuple[int, ...]]:
@@ -185,7 +191,10 @@ def pack_plan(histogram: np.ndarray, per_length: int = 10) -> tuple[np.ndarray,
     return np.array(plan, np.int64).reshape(-1, 5), sequences
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", per_length: int = 10) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id",
+    text_col: str = "text", per_length: int = 10,
+) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     Returns per piece: ``id_col``, piece, start, length, ids_crc32, sequence_id,
@@ -195,7 +204,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
     """
     pieces = materialise(token_pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pieces")
     counts = pieces.groupBy("length", "part").agg((F.max("number") + 1).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(
+        F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0),
+    )
     bases = counts.withColumn("base", before).drop("n")
     histogram = np.zeros(capacity + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
@@ -207,11 +219,17 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length, number = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 5))
-            run = plan[np.searchsorted(starts, length << 48 | number, side="right") - 1] if len(plan) else np.zeros((0, 5), np.int64)
+            run = plan[
+                np.searchsorted(starts, length << 48 | number, side="right") - 1
+            ] if len(plan) else np.zeros((0, 5), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(run[:, 3] + number - run[:, 1]), pa.array(run[:, 4])], [*batch.schema.names[:5], "sequence_id", "offset"]
+                [
+                    *batch.columns[:5], pa.array(run[:, 3] + number - run[:, 1]), pa.array(run[:, 4])
+                ], [*batch.schema.names[:5], "sequence_id", "offset"]
             )
 
-    own = pieces.join(bases, ["length", "part"]).select(id_col, "piece", "start", "length", "ids_crc32", (F.col("number") + F.col("base")).alias("number"))
+    own = pieces.join(bases, ["length", "part"]).select(
+        id_col, "piece", "start", "length", "ids_crc32", (F.col("number") + F.col("base")).alias("number")
+    )
     kinds = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     return own.mapInArrow(place, kinds)

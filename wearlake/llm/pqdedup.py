@@ -35,7 +35,9 @@ class Quantiser:
     centroids: np.ndarray
     books: np.ndarray
 
-    def assign(self, x: np.ndarray, radius: float, slack: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    def assign(self, x: np.ndarray, radius: float, slack: float) -> tuple[
+        np.ndarray, list[np.ndarray], np.ndarray, np.ndarray
+    ]:
         """Nearest list, probed lists (nearest first), codes and coding error of each unit vector."""
         c = self.centroids
         d2 = np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2 * x @ c.T, 0)
@@ -77,13 +79,18 @@ def k_means(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.
     return c
 
 
-def fit_quantiser(sample: np.ndarray, lists: int, subspaces: int, codes: int = 256, rounds: int = 8, seed: int = 7) -> Quantiser:
+def fit_quantiser(
+    sample: np.ndarray, lists: int, subspaces: int, codes: int = 256, rounds: int = 8, seed: int = 7
+) -> Quantiser:
     """Fit on unit vectors; their width must be a multiple of ``subspaces``."""
     rng = np.random.default_rng(seed)
     centroids = k_means(sample, lists, rounds, rng)
     home = ((centroids * centroids).sum(1)[None, :] - 2 * sample @ centroids.T).argmin(axis=1)
     residual = (sample - centroids[home]).reshape(len(sample), subspaces, -1)
-    return Quantiser(centroids, np.stack([k_means(np.ascontiguousarray(residual[:, j]), codes, rounds, rng) for j in range(subspaces)]))
+    return Quantiser(
+        centroids,
+        np.stack([k_means(np.ascontiguousarray(residual[:, j]), codes, rounds, rng) for j in range(subspaces)]),
+    )
 
 
 def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
@@ -94,10 +101,14 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
             nodes, units, widths = [], [], []
             for v, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 x = None if v is None or label is None or None in v else np.array(v, np.float64) + 0.0
-                norm = np.linalg.norm(x / np.abs(x).max()) if x is not None and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0 else 0.0
+                norm = np.linalg.norm(
+                    x / np.abs(x).max()
+                ) if x is not None and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0 else 0.0
                 if norm:
                     raw = np.frombuffer(x.tobytes() + int(label).to_bytes(8, "little", signed=True), np.uint8)
-                    nodes.append(int(tv.span_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)]))[0] >> np.uint64(1)))
+                    nodes.append(
+                        int(tv.span_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)]))[0] >> np.uint64(1))
+                    )
                     units.append((x / np.abs(x).max() / norm).tobytes())
                     widths.append(len(x))
                 else:
@@ -105,10 +116,15 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
                     units.append(None)
                     widths.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), batch.column(2), pa.array(widths, pa.int32()), pa.array(units, pa.binary())], ["vec_id", "node", "label", "width", "unit"]
+                [
+                    batch.column(0), pa.array(nodes, pa.int64()), batch.column(2), pa.array(widths, pa.int32()),
+                    pa.array(units, pa.binary()),
+                ], ["vec_id", "node", "label", "width", "unit"]
             )
 
-    return vectors.select(F.col(id_col).cast("long"), vec_col, F.col(label_col).cast("long")).mapInArrow(run, "vec_id long, node long, label long, width int, unit binary")
+    return vectors.select(
+        F.col(id_col).cast("long"), vec_col, F.col(label_col).cast("long")
+    ).mapInArrow(run, "vec_id long, node long, label long, width int, unit binary")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -153,12 +169,20 @@ def near_duplicate_vectors(
     the line between two centroids.
     """
     rows = materialise(_nodes(vectors, id_col, vec_col, label_col), "vectors")
-    nodes = materialise(rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("label").alias("label"), F.first("width").alias("width"), F.first("unit").alias("unit")), "vector-nodes")
+    nodes = materialise(
+        rows.filter("node is not null").groupBy("node").agg(
+            F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("label").alias("label"),
+            F.first("width").alias("width"), F.first("unit").alias("unit"),
+        ),
+        "vector-nodes",
+    )
     count, wide = nodes.agg(F.count("*"), F.max("width")).first()
     radius = float(np.sqrt(2 - 2 * cosine)) + 1e-9
     dim = -(-(wide or 1) // subspaces) * subspaces
     sample = nodes.select("unit").orderBy("node").limit(sample_rows).toArrow().column("unit")  # at most ``sample_rows`` vectors
-    model = fit_quantiser(_matrix(sample, dim), max(1, min(most_lists, round(count**0.5))), subspaces, min(256, max(1, count))) if count else Quantiser(np.zeros((1, dim)), np.zeros((subspaces, 1, dim // subspaces)))
+    model = fit_quantiser(
+        _matrix(sample, dim), max(1, min(most_lists, round(count**0.5))), subspaces, min(256, max(1, count))
+    ) if count else Quantiser(np.zeros((1, dim)), np.zeros((subspaces, 1, dim // subspaces)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,11 +190,21 @@ def near_duplicate_vectors(
                 part = batch.slice(k, 2048)
                 home, probes, codes, error = model.assign(_matrix(part.column(4), dim), radius, slack)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(home.astype(np.int32)), pa.array([p.astype(np.int32) for p in probes], pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error)],
+                    [
+                        *part.columns, pa.array(home.astype(np.int32)),
+                        pa.array([p.astype(np.int32) for p in probes], pa.list_(pa.int32())),
+                        pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
+                    ],
                     ["node", "copies", "label", "width", "unit", "home", "probes", "codes", "error"],
                 )
 
-    coded = materialise(nodes.select("node", "copies", "label", "width", "unit").mapInArrow(code, "node long, copies long, label long, width int, unit binary, home int, probes array<int>, codes binary, error double"), "coded")
+    coded = materialise(
+        nodes.select("node", "copies", "label", "width", "unit").mapInArrow(
+            code,
+            "node long, copies long, label long, width int, unit binary, home int, probes array<int>, codes binary, error double",
+        ),
+        "coded",
+    )
     where = ["label", "width", "list"]
     members = coded.withColumn("list", F.col("home"))
     queries = coded.withColumn("list", F.explode("probes"))
@@ -179,8 +213,12 @@ def near_duplicate_vectors(
     columns = ["label", "width", "list", "q", "m", "role", "node", "copies", "unit", "home", "probes", "codes", "error"]
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = queries.join(blocks, where).withColumn("q", number("q_blocks")).withColumn("m", every("m_blocks")).withColumn("role", F.lit(0))
-    held = members.join(blocks, where).withColumn("m", number("m_blocks")).withColumn("q", every("q_blocks")).withColumn("role", F.lit(1))
+    asked = queries.join(blocks, where).withColumn(
+        "q", number("q_blocks")
+    ).withColumn("m", every("m_blocks")).withColumn("role", F.lit(0))
+    held = members.join(blocks, where).withColumn(
+        "m", number("m_blocks")
+    ).withColumn("q", every("q_blocks")).withColumn("role", F.lit(1))
 
     def link(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -197,7 +235,12 @@ def near_duplicate_vectors(
         near &= q_node[:, None] != m_node[None, :]
         a, b = np.nonzero(near)
         # one way for all pairs, so that a pair at the threshold is judged alike in every block
-        exact = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", x[a[k : k + 65536]], y[b[k : k + 65536]]) for k in range(0, len(a), 65536))])
+        exact = np.concatenate(
+            [
+                np.zeros(0),
+                *(np.einsum("ij,ij->i", x[a[k : k + 65536]], y[b[k : k + 65536]]) for k in range(0, len(a), 65536)),
+            ]
+        )
         keep = exact >= cosine
         a, b = a[keep], b[keep]
         if not len(a):
@@ -215,16 +258,29 @@ def near_duplicate_vectors(
         least = name[_local_least(vertex[a], vertex[len(x) + b], len(name))]
         links = np.bincount(vertex, np.concatenate((q_links, m_links)), minlength=len(name)).astype(np.int64)
         touched = np.unique(np.concatenate((vertex[a], vertex[len(x) + b])))
-        return pa.table([pa.array(name[touched]), pa.array(links[touched]), pa.array(least[touched])], names=["node", "links", "least"])
+        return pa.table(
+            [pa.array(name[touched]), pa.array(links[touched]), pa.array(least[touched])],
+            names=["node", "links", "least"],
+        )
 
-    found = asked.select(*columns).union(held.select(*columns)).groupBy(*where, "q", "m").applyInArrow(link, "node long, links long, least long")
+    found = asked.select(*columns).union(held.select(*columns)).groupBy(*where, "q", "m").applyInArrow(
+        link, "node long, links long, least long"
+    )
     found = materialise(found, "vector-links")
     discard(coded)
     parts = connected_components(found, "node", "least")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = nodes.select("node", "copies", "least").join(parts, "node", "left").join(links, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = nodes.select("node", "copies", "least").join(parts, "node", "left").join(links, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "component").select(F.col("node").alias("c_node"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component_id")
+    named = classes.join(smallest, "component").select(
+        F.col("node").alias("c_node"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+        "component_id",
+    )
     joined = rows.select("vec_id", "node").join(named, F.col("node") == F.col("c_node"), "left")
     component = F.coalesce("component_id", "vec_id")
-    return joined.select(F.col("vec_id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    return joined.select(
+        F.col("vec_id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"),
+    )

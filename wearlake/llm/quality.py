@@ -74,10 +74,18 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     lines = np.diff(line_first).astype(float)
     columns = [
         np.log1p(words), np.log1p(mean), np.log1p(spread),
-        _share(per_text(kind == 2), size, 0.03, 60), _share(per_text(kind == 3), size, 0.004, 60), _share(per_text(kind == 7), size, 0.02, 60),
-        _share(per_text(kind == 4), size, 0.03, 60), _share(per_text(kind == 5), size, 0.002, 60), _share(by(marked), words, 0.005, 10), np.log1p(lines) - np.log1p(words),
-        _share(distinct(hashes, first), words, 0.9, 10), _share(distinct(pairs, pair_first), np.diff(pair_first).astype(float), 0.97, 10),
-        _share(distinct(tv.span_hashes(data, line_starts, bare), line_first), lines, 0.97, 5), _share(by(capital), words, 0.01, 10), _share(by((length <= 3).astype(float)), words, 0.4, 10),
+        _share(per_text(kind == 2), size, 0.03, 60), _share(
+            per_text(kind == 3), size, 0.004, 60
+        ), _share(per_text(kind == 7), size, 0.02, 60),
+        _share(per_text(kind == 4), size, 0.03, 60), _share(
+            per_text(kind == 5), size, 0.002, 60
+        ), _share(by(marked), words, 0.005, 10), np.log1p(lines) - np.log1p(words),
+        _share(distinct(hashes, first), words, 0.9, 10), _share(
+            distinct(pairs, pair_first), np.diff(pair_first).astype(float), 0.97, 10
+        ),
+        _share(
+            distinct(tv.span_hashes(data, line_starts, bare), line_first), lines, 0.97, 5
+        ), _share(by(capital), words, 0.01, 10), _share(by((length <= 3).astype(float)), words, 0.4, 10),
     ]
     return np.stack(columns, axis=1)
 
@@ -170,14 +178,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, cal
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.concatenate([np.zeros((0, len(STATISTICS))), *(statistics(data, offsets) for _, _, data, offsets in tv.blocks(batch.column(0)))])
+            x = np.concatenate(
+                [
+                    np.zeros((0, len(STATISTICS))),
+                    *(statistics(data, offsets) for _, _, data, offsets in tv.blocks(batch.column(0))),
+                ]
+            )
             flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([flat, batch.column(1), batch.column(2)], ["x", "y", "k"])
 
     place = F.pmod(F.xxhash64("text"), F.lit(calibrate)).cast("int")
     found = sample.select("text", "y", place.alias("k")).mapInArrow(rows, "x array<double>, y int, k int").toPandas()  # at most 2 * per_class rows of 15 numbers
     discard(sample)
-    x, y, late = np.array(found["x"].to_list(), float).reshape(-1, len(STATISTICS)), found["y"].to_numpy(), found["k"].to_numpy() == 0
+    x, y, late = np.array(
+        found["x"].to_list(), float
+    ).reshape(-1, len(STATISTICS)), found["y"].to_numpy(), found["k"].to_numpy() == 0
     model = fit_quadratic(x[~late], y[~late])
     n = class_counts(labels, "quality", ~held_out(F.col("doc_id")))
     model.log_priors = np.log(np.maximum(np.array(n, float), 1) / max(sum(n), 1))
@@ -185,7 +200,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = 10_000, cal
     return model
 
 
-def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, prefix: str = "") -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False,
+    prefix: str = "",
+) -> DataFrame:
     """``id_col``, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= 0.5) of every whole text.
 
     With ``keep`` all input columns and these two.  Only the text is an input of
@@ -203,7 +221,10 @@ def score_quality(docs: DataFrame, model: QuadraticModel, id_col: str = "doc_id"
         for batch in batches:
             s = np.concatenate([np.zeros(0), *(model.scores(statistics(data, offsets)) for _, _, data, offsets in tv.blocks(batch.column(at_text)))])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(names.index(c)) for c in out_names), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*out_names, *added]
+                [
+                    *(batch.column(names.index(c)) for c in out_names), pa.array(s),
+                    pa.array((s >= 0.5).astype(np.int32)),
+                ], [*out_names, *added]
             )
         tv.trim()
 

@@ -69,7 +69,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_toxicity, op2_token_counts, op3_packing, op4_quality, op5_embedding_dedup, op6_mixing, op7_fingerprints, op8_jaccard_join, op9_chat_quotes, op10_token_file, pipeline)
+    own = (
+        op1_toxicity, op2_token_counts, op3_packing, op4_quality, op5_embedding_dedup, op6_mixing, op7_fingerprints,
+        op8_jaccard_join, op9_chat_quotes, op10_token_file, pipeline,
+    )
     return {f.__name__: f for f in own}
 
 

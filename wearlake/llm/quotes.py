@@ -54,31 +54,59 @@ def parse_quotes(messages: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds own (text without quotations) and passages, an array of (level, body) in order; -1: dropped introductions."""
     clean = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "\r", "")
     marks = lambda line: F.length(F.regexp_replace(F.regexp_extract(line, MARK, 0), "[^>]", ""))
-    lines = F.transform(F.split("_clean", "\n", -1), lambda x: F.struct(marks(x).alias("level"), F.regexp_replace(x, MARK, "").alias("body")))
+    lines = F.transform(
+        F.split("_clean", "\n", -1),
+        lambda x: F.struct(marks(x).alias("level"), F.regexp_replace(x, MARK, "").alias("body")),
+    )
     after = lambda i: F.get("_lines", i + 1)["level"]
     dropped = F.transform(
-        "_lines", lambda x, i: F.struct(F.when(x["body"].rlike(INTRODUCTION) & (F.coalesce(after(i), F.lit(0)) > x["level"]), F.lit(-1)).otherwise(x["level"]).alias("level"), x["body"].alias("body"))
+        "_lines", lambda x, i: F.struct(
+            F.when(
+                x["body"].rlike(INTRODUCTION) & (F.coalesce(after(i), F.lit(0)) > x["level"]), F.lit(-1)
+            ).otherwise(x["level"]).alias("level"),
+            x["body"].alias("body"),
+        )
+    )
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("_lines") - 1),
+        lambda i: (i == 0) | (F.get("_lines", i)["level"] != F.get("_lines", i - 1)["level"]),
+    )
+    body = lambda s, k: F.array_join(
+        F.transform(
+            F.slice("_lines", s + 1, F.coalesce(F.get("_starts", k + 1), F.size("_lines")) - s), lambda x: x["body"]
+        ),
+        "\n",
+    )
+    runs = F.transform(
+        "_starts", lambda s, k: F.struct(F.get("_lines", s)["level"].alias("level"), body(s, k).alias("body"))
     )
-    starts = F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: (i == 0) | (F.get("_lines", i)["level"] != F.get("_lines", i - 1)["level"]))
-    body = lambda s, k: F.array_join(F.transform(F.slice("_lines", s + 1, F.coalesce(F.get("_starts", k + 1), F.size("_lines")) - s), lambda x: x["body"]), "\n")
-    runs = F.transform("_starts", lambda s, k: F.struct(F.get("_lines", s)["level"].alias("level"), body(s, k).alias("body")))
     quoting = F.col("_clean").rlike(r"(?m)^[ \t]*>")
     parsed = (
         messages.withColumn("_clean", clean)
         .withColumn("_lines", F.when(quoting, lines))
         .withColumn("_lines", F.when(F.col("_lines").isNotNull(), dropped))
         .withColumn("_starts", F.when(F.col("_lines").isNotNull(), starts))
-        .withColumn("passages", F.coalesce(F.when(F.col("_lines").isNotNull(), runs), F.array(F.struct(F.lit(0).alias("level"), F.col("_clean").alias("body")))))
+        .withColumn(
+            "passages",
+            F.coalesce(
+                F.when(F.col("_lines").isNotNull(), runs),
+                F.array(F.struct(F.lit(0).alias("level"), F.col("_clean").alias("body"))),
+            ),
+        )
     )
     own = F.array_join(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: p["body"]), "\n")
-    return parsed.withColumn("own", F.regexp_replace(own, rf"^{WHITE}|{WHITE}$", "")).drop("_clean", "_lines", "_starts")
+    return parsed.withColumn(
+        "own", F.regexp_replace(own, rf"^{WHITE}|{WHITE}$", "")
+    ).drop("_clean", "_lines", "_starts")
 
 
 def _before(rows: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
     """keys, ``value`` and how many (the sum of ``n``) rows of the same keys have a smaller value, from one row per value:
     inside blocks of TURNS values, and over one row a block."""
     rows = rows.withColumn("_block", F.floor(F.col(value) / TURNS))
-    inside = F.sum(n).over(Window.partitionBy(*keys, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum(n).over(
+        Window.partitionBy(*keys, "_block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    )
     blocks = rows.groupBy(*keys, "_block").agg(F.sum(n).alias("_n"))
     ahead = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select(*keys, "_block", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
@@ -103,13 +131,20 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     equal conv_id and turn are kept and share what precedes them; other columns
     are left out; an empty table gives an empty result.
     """
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("source"))
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("source"),
+    )
     placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
     own = F.filter("passages", lambda p: p["level"] == 0)
     quoted = F.filter("passages", lambda p: (p["level"] > 0) & (normalised(p["body"]) != ""))
     parsed = parse_quotes(rows, "source").select(
-        "conv_id", "turn", "role", "own", F.md5("source").alias("key"), _units(F.concat(F.array("own"), F.transform(own, lambda p: p["body"]))).alias("own_units"),
-        F.transform(quoted, lambda p: F.struct(p["level"].alias("level"), _units(F.array(p["body"])).alias("units"))).alias("quoted"),
+        "conv_id", "turn", "role", "own", F.md5("source").alias("key"), _units(
+            F.concat(F.array("own"), F.transform(own, lambda p: p["body"]))
+        ).alias("own_units"),
+        F.transform(
+            quoted, lambda p: F.struct(p["level"].alias("level"), _units(F.array(p["body"])).alias("units"))
+        ).alias("quoted"),
     )
     parsed = materialise(parsed, "messages")
 
@@ -117,11 +152,15 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     asked = (
         parsed.filter(placed & (F.size("quoted") > 0))
         .select("conv_id", "turn", "key", F.posexplode("quoted").alias("passage", "p"))
-        .select("conv_id", "turn", "key", "passage", F.col("p.level").alias("level"), F.explode("p.units").alias("unit"))
+        .select(
+            "conv_id", "turn", "key", "passage", F.col("p.level").alias("level"), F.explode("p.units").alias("unit")
+        )
         .select("conv_id", "turn", "key", "passage", "level", "unit.hash", "unit.size")
         .distinct()
     )
-    in_conversation = units.groupBy("unit.hash", "conv_id").agg(F.min("turn").alias("o_turn")).join(asked.select("hash").distinct(), "hash", "left_semi")
+    in_conversation = units.groupBy("unit.hash", "conv_id").agg(F.min("turn").alias("o_turn")).join(
+        asked.select("hash").distinct(), "hash", "left_semi"
+    )
     anywhere = in_conversation.groupBy("hash").agg(F.min(F.struct("conv_id", "o_turn")).alias("first"))
     found = asked.join(in_conversation, ["hash", "conv_id"], "left").join(anywhere, "hash", "left")
     local = F.col("o_turn") < F.col("turn")
@@ -132,41 +171,72 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
         F.when(local, F.col("o_turn")).when(other, F.col("first.o_turn")).alias("p_turn"),
     ).filter("p_conv is not null")
     best = found.groupBy("conv_id", "turn", "key").agg(
-        F.max(F.struct((F.col("p_conv") == F.col("conv_id")).alias("near"), F.negate("level").alias("depth"), "size", "p_turn", F.negate("p_conv").alias("back"))).alias("best"),
+        F.max(
+            F.struct(
+                (F.col("p_conv") == F.col("conv_id")).alias("near"), F.negate("level").alias("depth"), "size", "p_turn",
+                F.negate("p_conv").alias("back"),
+            )
+        ).alias("best"),
         F.countDistinct("passage").alias("n_linked"),
     )
 
     # turns before a message: inside its block of turns, else the last of the block before
-    blocked = parsed.select("conv_id", "turn", "role", "own", "key", F.size("quoted").cast("long").alias("n_quotes"), F.floor(F.col("turn") / TURNS).alias("block"))
-    blocks = blocked.filter(placed).groupBy("conv_id", "block").agg(F.max("turn").alias("last"), F.count("*").alias("n"))
+    blocked = parsed.select(
+        "conv_id", "turn", "role", "own", "key", F.size("quoted").cast("long").alias("n_quotes"),
+        F.floor(F.col("turn") / TURNS).alias("block"),
+    )
+    blocks = blocked.filter(placed).groupBy("conv_id", "block").agg(
+        F.max("turn").alias("last"), F.count("*").alias("n")
+    )
     by_block = Window.partitionBy("conv_id").orderBy("block")
-    blocks = blocks.select("conv_id", "block", F.lag("last").over(by_block).alias("b_turn"), F.coalesce(F.sum("n").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b_rows"))
+    blocks = blocks.select(
+        "conv_id", "block", F.lag("last").over(by_block).alias("b_turn"),
+        F.coalesce(F.sum("n").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b_rows"),
+    )
     earlier = Window.partitionBy("conv_id", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    within = blocked.withColumn("w_turn", F.max("turn").over(earlier)).withColumn("w_rows", F.count("turn").over(earlier))
+    within = blocked.withColumn("w_turn", F.max("turn").over(earlier)).withColumn(
+        "w_rows", F.count("turn").over(earlier)
+    )
     joined = within.join(blocks, ["conv_id", "block"], "left").join(best, ["conv_id", "turn", "key"], "left")
     linked = F.col("best").isNotNull()
     before = F.coalesce("w_turn", "b_turn")
     told = joined.select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own").alias("formatted"),
+        "conv_id", "turn", "role", F.col("own").alias("text"), F.concat(
+            F.lit("<|"), "role", F.lit("|>\n"), "own"
+        ).alias("formatted"),
         "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        F.coalesce(F.when(linked, F.negate("best.back")).when(placed & before.isNotNull(), F.col("conv_id")), F.lit(-1)).alias("parent_conv_id"),
+        F.coalesce(
+            F.when(linked, F.negate("best.back")).when(placed & before.isNotNull(), F.col("conv_id")), F.lit(-1)
+        ).alias("parent_conv_id"),
         F.coalesce(F.when(linked, F.col("best.p_turn")).when(placed, before), F.lit(-1)).alias("parent_turn"),
         linked.alias("linked"), F.when(placed, F.col("w_rows") + F.col("b_rows")).alias("position"),
     )
     # reply order: messages with a smaller parent, and messages of the same parent with a smaller turn
-    told = materialise(told.withColumn("_parent", F.coalesce(F.when(F.col("parent_conv_id") == F.col("conv_id"), F.col("parent_turn")), F.lit(_FIRST))), "replies")
+    told = materialise(
+        told.withColumn(
+            "_parent",
+            F.coalesce(F.when(F.col("parent_conv_id") == F.col("conv_id"), F.col("parent_turn")), F.lit(_FIRST)),
+        ),
+        "replies",
+    )
     counted = told.filter(placed).groupBy("conv_id", "_parent", "turn").agg(F.count("*").alias("n"))
     siblings = _before(counted, ["conv_id", "_parent"], "turn", "n").withColumnRenamed("before", "_siblings")
-    families = _before(counted.groupBy("conv_id", "_parent").agg(F.sum("n").alias("n")), ["conv_id"], "_parent", "n").withColumnRenamed("before", "_families")
+    families = _before(
+        counted.groupBy("conv_id", "_parent").agg(F.sum("n").alias("n")), ["conv_id"], "_parent", "n"
+    ).withColumnRenamed("before", "_families")
     ranked = told.join(siblings, ["conv_id", "_parent", "turn"], "left").join(families, ["conv_id", "_parent"], "left")
-    return ranked.withColumn("reply_rank", F.col("_siblings") + F.col("_families")).drop("_parent", "_siblings", "_families")
+    return ranked.withColumn(
+        "reply_rank", F.col("_siblings") + F.col("_families")
+    ).drop("_parent", "_siblings", "_families")
 
 
 def assembled(linked: DataFrame, messages: int = TURNS) -> DataFrame:
     """Conversations in reply order, from ``link_quotations``: (conv_id, part, messages), where messages is an array of (reply_rank,
     turn, role, text), at most about ``messages`` a part, since a conversation may have any length.  Messages without a place stay out."""
     rows = linked.filter("reply_rank is not null").withColumn("part", F.floor(F.col("reply_rank") / messages))
-    return rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("reply_rank", "turn", "role", "text"))).alias("messages"))
+    return rows.groupBy("conv_id", "part").agg(
+        F.array_sort(F.collect_list(F.struct("reply_rank", "turn", "role", "text"))).alias("messages")
+    )
 
 
 #: The same rows in DuckDB SQL over a table ``conversations``.

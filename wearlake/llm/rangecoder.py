@@ -48,7 +48,9 @@ def _states() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each state: start weights of the three outcomes, and whether order 2 and order 1 can be an outcome."""
     state = np.arange(STATES)
     two, one, agree = state >> 3, state >> 1 & 3, state & 1
-    start = np.stack((np.array([0, 3, 14, 40])[two], np.where(agree, 0, np.array([0, 1, 4, 12])[one]), np.full(STATES, 16)), axis=1)
+    start = np.stack(
+        (np.array([0, 3, 14, 40])[two], np.where(agree, 0, np.array([0, 1, 4, 12])[one]), np.full(STATES, 16)), axis=1
+    )
     return start, two > 0, (one > 0) & (agree == 0)
 
 
@@ -106,7 +108,9 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
     before, two = np.zeros_like(ids), np.zeros_like(ids)
     before[:, 1:], two[:, 2:] = symbol[:, :-1], symbol[:, :-2]
     first = _entries((lane * (int(sizes.max(initial=0)) + 1) + before).ravel(), symbol.ravel(), 1).reshape(lanes, most)
-    second = _entries((lane * SLOTS + ((before * 0x1B5 ^ two * 0x5A4D) & (SLOTS - 1))).ravel(), symbol.ravel(), 3).reshape(lanes, most)
+    second = _entries(
+        (lane * SLOTS + ((before * 0x1B5 ^ two * 0x5A4D) & (SLOTS - 1))).ravel(), symbol.ravel(), 3
+    ).reshape(lanes, most)
     state = (first | second) & _RUNS | (first ^ second < 32)
     hit_two, hit_one = second >> 5 == symbol, first >> 5 == symbol
     outcome = 2 - 2 * hit_two.view(np.int8) - (hit_one & ~hit_two).view(np.int8)
@@ -131,7 +135,9 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
         if b < most:
             live = inside[:, a:b]
             seen += np.bincount((at * 3 + out)[live], minlength=seen.size).reshape(seen.shape)
-            count += np.bincount((own - lane)[live & (out == 2)], minlength=count.size).reshape(count.shape).astype(np.int32)
+            count += np.bincount(
+                (own - lane)[live & (out == 2)], minlength=count.size
+            ).reshape(count.shape).astype(np.int32)
     return start, width
 
 
@@ -155,7 +161,9 @@ def unpack_alphabet(raw: bytes, at: int = 0) -> tuple[np.ndarray, int]:
     high = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8, middle - at - 7, at + 7), count=long))
     if len(high) != n:
         raise ValueError("damaged alphabet of a block")
-    low = np.unpackbits(np.frombuffer(raw, np.uint8, end - middle, middle), count=n * cut).reshape(n, cut).astype(np.int64)
+    low = np.unpackbits(
+        np.frombuffer(raw, np.uint8, end - middle, middle), count=n * cut
+    ).reshape(n, cut).astype(np.int64)
     return (high - np.arange(n)) << cut | low @ (np.int64(1) << np.arange(cut)), end
 
 
@@ -317,8 +325,12 @@ def decode(parts: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             inside = np.arange(a, b)[:, None] < length
             own = noted[a:b].astype(np.int64)
             outcome = (own >> 6) + 2
-            seen += np.bincount(((base_state + (own & _RUNS)) * 3 + outcome)[inside], minlength=seen.size).reshape(seen.shape)
-            count += np.bincount((base_place + ids[a:b])[inside & (outcome == 2)], minlength=count.size).reshape(count.shape).astype(np.int32)
+            seen += np.bincount(
+                ((base_state + (own & _RUNS)) * 3 + outcome)[inside], minlength=seen.size
+            ).reshape(seen.shape)
+            count += np.bincount(
+                (base_place + ids[a:b])[inside & (outcome == 2)], minlength=count.size
+            ).reshape(count.shape).astype(np.int32)
     done: list[np.ndarray] = [np.zeros(0, np.int64)] * lanes
     ids = np.ascontiguousarray(ids.T)
     for row, k in enumerate(order):

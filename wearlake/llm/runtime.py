@@ -92,6 +92,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         links, written, loops = now, now, False
     ends = nodes.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     labels = (links.filter("u <> v") if loops else links).groupBy("u").agg(F.min("v").alias("m"))
-    found = materialise(ends.join(labels, ends.node == labels.u, "left").select("node", F.coalesce("m", "node").alias("component")), "components")
+    found = materialise(
+        ends.join(labels, ends.node == labels.u, "left").select("node", F.coalesce("m", "node").alias("component")),
+        "components",
+    )
     discard(nodes, written)
     return found

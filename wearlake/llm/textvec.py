@@ -49,12 +49,16 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = column.fill_null(b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
+        column = column.fill_null(
+            b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else ""
+        )
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[
+        column.offset : column.offset + len(column) + 1
+    ].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
@@ -180,7 +184,9 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.nda
     out[:] = total[where] if len(words) else 0
     for t in short:
         own = words[first[t] : first[t + 1]]
-        out[begin[t]] = int((own * _SHINGLE_WEIGHTS[: len(own)]).sum(dtype=_U)) + len(own) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF
+        out[begin[t]] = int(
+            (own * _SHINGLE_WEIGHTS[: len(own)]).sum(dtype=_U)
+        ) + len(own) * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF
     return mix64(out), begin
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from wearlake.llm import textvec as tv
 
 
-def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """One row per document: ``id_col``, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     ``tokenizer`` is the path of a byte-level BPE file, the same on every
@@ -39,8 +41,12 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 1024, id_col: str
                 tokens.append(counter.counts(data, offsets))
             n = np.concatenate(tokens)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(sizes)), pa.array(n), pa.array(n > limit)], [id_col, "n_bytes", "n_tokens", "over_limit"]
+                [
+                    batch.column(0), pa.array(np.concatenate(sizes)), pa.array(n), pa.array(n > limit)
+                ], [id_col, "n_bytes", "n_tokens", "over_limit"]
             )
         tv.trim()
 
-    return docs.select(id_col, text_col).mapInArrow(count, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(id_col, text_col).mapInArrow(
+        count, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean"
+    )

@@ -41,7 +41,9 @@ _HEAD, _BLOCK = struct.Struct("<4sBIII"), struct.Struct("<III")
 def pack_chunk(doc_ids: list, lengths: np.ndarray, ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     """The payload of documents whose token ids lie in a row; ValueError for token ids beyond 0 to 2**32 - 1."""
     null = np.array([x is None for x in doc_ids], np.uint8)
-    index = zlib.compress(null.tobytes() + np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.asarray(lengths, "<i8").tobytes())
+    index = zlib.compress(
+        null.tobytes() + np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.asarray(lengths, "<i8").tobytes()
+    )
     blocks = [ids[k : k + block_ids] for k in range(0, len(ids), block_ids)]
     out = [_HEAD.pack(b"WLRC", 2, len(doc_ids), len(blocks), zlib.crc32(index)), struct.pack("<I", len(index)), index]
     for own, coded in zip(blocks, rangecoder.encode(blocks)):
@@ -81,7 +83,10 @@ def unpack_chunk(payload: bytes) -> tuple[list, np.ndarray, np.ndarray]:
     return doc_ids, lengths, np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
 
 
-def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", chunk_ids: int = BLOCK_IDS * CHUNK_BLOCKS) -> None:
+def write_token_file(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    chunk_ids: int = BLOCK_IDS * CHUNK_BLOCKS,
+) -> None:
     """Encode every whole text, append ``end_id``, and write ids in ascending order of (doc_id, hash of the text, text), nulls first.
 
     A null text counts as empty (the end id alone); repeated rows are written
@@ -103,7 +108,9 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0
         def flush() -> pa.RecordBatch:
             nonlocal names, lengths, parts, held, chunk, before
             payload = pack_chunk(names, np.concatenate(lengths), np.concatenate(parts))
-            row = pa.RecordBatch.from_pydict({"part": [part], "chunk": [chunk], "first_id": [before], "n_ids": [held], "payload": [payload]})
+            row = pa.RecordBatch.from_pydict(
+                {"part": [part], "chunk": [chunk], "first_id": [before], "n_ids": [held], "payload": [payload]}
+            )
             before, chunk = before + held, chunk + 1
             names, lengths, parts, held = [], [], [], 0
             return row
@@ -149,7 +156,10 @@ def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id") -> D
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(base[part] + first + at[:-1]), pa.array(lengths), pa.array(crc, pa.int64()), lists],
+                    [
+                        pa.array(doc_ids, pa.int64()), pa.array(base[part] + first + at[:-1]), pa.array(lengths),
+                        pa.array(crc, pa.int64()), lists,
+                    ],
                     [id_col, "start", "n_tokens", "ids_crc32", "ids"],
                 )
 

@@ -100,7 +100,9 @@ def _vocabulary(sample: DataFrame, most: int, least_share: float, least_odds: fl
                 found, at = np.unique(hashes, return_index=True)
                 n = np.diff(np.append(at, len(hashes)))
                 ones = np.add.reduceat(toxic, at).astype(np.int64) if len(at) else n
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(ones), pa.array(n - ones)], ["feature", "toxic", "clean"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64)), pa.array(ones), pa.array(n - ones)], ["feature", "toxic", "clean"]
+                )
 
     size = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
     rate = lambda c, y: (F.col(c) + 0.5) / (size.get(y, 0) + 1.0)
@@ -114,7 +116,10 @@ def _vocabulary(sample: DataFrame, most: int, least_share: float, least_odds: fl
     return np.sort(np.array([r["feature"] for r in scored.select("feature").collect()], np.int64).view(np.uint64))  # at most ``most`` rows
 
 
-def fit_ordinal(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, features: int, penalty: float = 1.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(
+    text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, features: int, penalty: float = 1.0,
+    steps: int = 400,
+) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that minimise the mean negative log-likelihood of grades plus penalty * |w|^2 / 2n, by Adam."""
     n, cuts = max(len(grade), 1), max(int(grade.max(initial=0)), 1)
     w, theta = np.zeros(features), np.linspace(1.0, 2.0, cuts)
@@ -129,15 +134,22 @@ def fit_ordinal(text: np.ndarray, feature: np.ndarray, value: np.ndarray, grade:
         d_score = -(slope[at, grade] - slope[at, grade + 1]) / p
         d_theta = np.zeros(cuts)
         for k in range(cuts):
-            d_theta[k] = np.sum(np.where(grade == k + 1, slope[:, k + 1] / p, 0.0) - np.where(grade == k, slope[:, k + 1] / p, 0.0))
-        g = np.concatenate((np.bincount(feature, d_score[text] * value, minlength=features) / n + penalty * w / n, d_theta / n))
+            d_theta[k] = np.sum(
+                np.where(grade == k + 1, slope[:, k + 1] / p, 0.0) - np.where(grade == k, slope[:, k + 1] / p, 0.0)
+            )
+        g = np.concatenate(
+            (np.bincount(feature, d_score[text] * value, minlength=features) / n + penalty * w / n, d_theta / n)
+        )
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, theta = w - move[:features], np.sort(theta - move[features:])
     return w, theta
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int = 4096, grades: int = 3, least_share: float = 0.01, least_odds: float = 2.0) -> OrdinalModel:
+def fit_toxicity(
+    docs: DataFrame, labels: DataFrame, per_class: int = 3000, features: int = 4096, grades: int = 3,
+    least_share: float = 0.01, least_odds: float = 2.0,
+) -> OrdinalModel:
     """Fit on at most ``per_class`` toxic and as many clean labelled documents.
 
     A feature must occur in ``least_share`` of the toxic ones (3 at least) and
@@ -155,7 +167,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, feat
                 text, feature, value = sparse_rows(data, offsets, keys)
                 at = np.searchsorted(text, np.arange(end - row + 1))
                 lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, kind))
-                yield pa.RecordBatch.from_arrays([pa.array(label[row:end]), lists(feature, pa.int32()), lists(value, pa.float64())], ["y", "f", "v"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(label[row:end]), lists(feature, pa.int32()), lists(value, pa.float64())], ["y", "f", "v"]
+                )
 
     found = sample.select("text", "y").mapInArrow(rows, "y int, f array<int>, v array<double>").toPandas()  # at most 2 * per_class short rows
     discard(sample)
@@ -172,7 +186,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, feat
     return OrdinalModel(keys, w, theta)
 
 
-def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, prefix: str = "") -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False,
+    prefix: str = "",
+) -> DataFrame:
     """Expected severity of every whole text.
 
     Returns ``id_col``, p_toxic (P(grade > 0)), severity (expected grade), grade
@@ -193,13 +210,17 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
             scores = [np.zeros(0)]
             for row, end, data, offsets in tv.blocks(batch.column(at_text)):
                 text, feature, value = sparse_rows(data, offsets, keys)
-                scores.append(np.bincount(text, value * w[feature], minlength=end - row) if len(text) else np.zeros(end - row))
+                scores.append(
+                    np.bincount(text, value * w[feature], minlength=end - row) if len(text) else np.zeros(end - row)
+                )
             s = np.concatenate(scores)
             above = 1 / (1 + np.exp(-np.clip(s[:, None] - theta[None, :], -40, 40)))
             edge = np.concatenate((np.ones((len(s), 1)), above, np.zeros((len(s), 1))), axis=1)
             grade = np.argmax(edge[:, :-1] - edge[:, 1:], axis=1).astype(np.int32)
             result = [pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(grade), pa.array(above[:, 0] >= 0.5)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(c)) for c in out_names), *result], [*out_names, *added])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(names.index(c)) for c in out_names), *result], [*out_names, *added]
+            )
         tv.trim()
 
     kinds = ", ".join(f"`{c}` {base.schema[c].dataType.simpleString()}" for c in out_names)
