@@ -13,7 +13,9 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[8]").config(
+            "spark.sql.shuffle.partitions", "8"
+        ).config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

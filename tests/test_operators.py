@@ -33,7 +33,9 @@ def test_kalman_against_matrix_form(spark):
     rng = np.random.default_rng(3)
     t = np.cumsum(rng.uniform(0.5, 2, 40))
     z = np.cumsum(rng.normal(size=40))
-    got = folds.kalman(spark.createDataFrame(pd.DataFrame({"session": 1, "t": t, "z": z})), ["z"]).toPandas().sort_values("t")["z_smooth"].to_numpy()
+    got = folds.kalman(
+        spark.createDataFrame(pd.DataFrame({"session": 1, "t": t, "z": z})), ["z"]
+    ).toPandas().sort_values("t")["z_smooth"].to_numpy()
     x, p, want = np.array([z[0], 0.0]), np.eye(2) * 1e-4, [z[0]]
     for k in range(1, 40):
         dt = t[k] - t[k - 1]
@@ -47,7 +49,10 @@ def test_kalman_against_matrix_form(spark):
 
 
 def test_merge_short(spark):
-    df = pd.DataFrame([(1, 0, 5, 0.8, 2.0), (1, 5, 40, 0.9, 3.0), (1, 40, 50, 0.7, 1.5)], columns=["session", "start_frame", "end_frame", "confidence", "motion_magnitude"])
+    df = pd.DataFrame(
+        [(1, 0, 5, 0.8, 2.0), (1, 5, 40, 0.9, 3.0), (1, 40, 50, 0.7, 1.5)],
+        columns=["session", "start_frame", "end_frame", "confidence", "motion_magnitude"],
+    )
     out = folds.merge_short(spark.createDataFrame(df)).toPandas()
     assert ((out.end_frame - out.start_frame) >= 15).all() and out.start_frame.min() == 0 and out.end_frame.max() == 50
 
@@ -55,7 +60,9 @@ def test_merge_short(spark):
 def test_interpolation_is_numpys(spark):
     t, v, g = np.array([0.0, 1, 3, 7]), np.array([1.0, 5, -2, 4]), np.array([-1.0, 0, 0.5, 2.9, 3, 6, 9])
     s = spark.createDataFrame(pd.DataFrame({"session": 1, "t": t, "v": v}))
-    out = series.interpolate(s, spark.createDataFrame(pd.DataFrame({"session": 1, "t": g})), ["v"]).toPandas().sort_values("t")
+    out = series.interpolate(
+        s, spark.createDataFrame(pd.DataFrame({"session": 1, "t": g})), ["v"]
+    ).toPandas().sort_values("t")
     assert np.allclose(out["v"], np.interp(g, t, v))
 
 
@@ -83,9 +90,14 @@ def test_hysteresis_against_state_machine(spark):
 
 def test_overlaps_without_duplicates(spark):
     rng = np.random.default_rng(2)
-    make = lambda n: [(1, k, float(a), float(a + w)) for k, (a, w) in enumerate(zip(rng.uniform(0, 50, n), rng.uniform(0, 20, n)))]
+    make = lambda n: [
+        (1, k, float(a), float(a + w)) for k, (a, w) in enumerate(zip(rng.uniform(0, 50, n), rng.uniform(0, 20, n)))
+    ]
     a, b = make(40), make(40)
-    got = intervals.overlaps(spark.createDataFrame(a, "session long, i long, l_start double, l_end double"), spark.createDataFrame(b, "session long, j long, r_start double, r_end double"), 5.0)
+    got = intervals.overlaps(
+        spark.createDataFrame(a, "session long, i long, l_start double, l_end double"),
+        spark.createDataFrame(b, "session long, j long, r_start double, r_end double"), 5.0,
+    )
     want = sorted((x[1], y[1]) for x in a for y in b if min(x[3], y[3]) - max(x[2], y[2]) > 0)
     assert sorted((r["i"], r["j"]) for r in got.collect()) == want
 
@@ -99,6 +111,8 @@ def test_wav_round_trip():
 def test_sensor_csv(spark, tmp_path):
     (tmp_path / "imu.csv").write_text("timestamp,accel_x,gyro_x\n2,1,180\n1,0,0\n")
     rows = readers.read_imu(spark, str(tmp_path / "imu.csv"), degrees=True).collect()
-    assert [r["timestamp"] for r in rows] == [1, 2] and abs(rows[1]["gyro_x"] - math.pi) < 1e-9 and rows[0]["accel_z"] == 0
+    assert [
+        r["timestamp"] for r in rows
+    ] == [1, 2] and abs(rows[1]["gyro_x"] - math.pi) < 1e-9 and rows[0]["accel_z"] == 0
     with pytest.raises(ValueError):
         readers.read_gps(spark, str(tmp_path / "imu.csv"))

@@ -32,11 +32,15 @@ def test_interpolation_across_blocks_and_ties(spark):
         assert np.allclose(out["v"], np.interp(g, t, v))
         last = series.as_of(s, d, ["v"], block=block).toPandas().sort_values("t")
         assert np.allclose(last["v"], v[np.clip(np.searchsorted(t, g, side="right") - 1, 0, 59)])
-    tied = frame(spark, [(1, 0.0, 5, 1.0), (1, 0.0, 7, 2.0), (1, 0.0, 6, 3.0)], "session long, t double, id long, v double")
+    tied = frame(
+        spark, [(1, 0.0, 5, 1.0), (1, 0.0, 7, 2.0), (1, 0.0, 6, 3.0)], "session long, t double, id long, v double"
+    )
     at = frame(spark, [(1, 0.0), (2, 1.0)], "session long, t double")
     assert {r["session"]: r["v"] for r in series.as_of(tied, at, ["v"], tie="id").collect()} == {1: 2.0, 2: None}
     empty = tied.filter("false")
-    assert series.interpolate(empty, at, ["v"], tie="id").count() == 2 and series.interpolate(tied, at.filter("false"), ["v"]).count() == 0
+    assert series.interpolate(empty, at, ["v"], tie="id").count() == 2 and series.interpolate(
+        tied, at.filter("false"), ["v"]
+    ).count() == 0
 
 
 def test_a_damaged_number_is_an_error(spark):
@@ -78,7 +82,11 @@ def test_resample_against_the_sum():
         most = max(up, down)
         taps = np.sinc(np.arange(-10 * most, 10 * most + 1) / most) * np.kaiser(20 * most + 1, 5.0)
         taps *= up / taps.sum()
-        want = [sum(x[k] * taps[m * down - k * up + 10 * most] for k in range(len(x)) if abs(m * down - k * up) <= 10 * most) for m in range(-(-len(x) * up // down))]
+        want = [
+            sum(
+                x[k] * taps[m * down - k * up + 10 * most] for k in range(len(x)) if abs(m * down - k * up) <= 10 * most
+            ) for m in range(-(-len(x) * up // down))
+        ]
         assert np.allclose(folds.resample(x, rate, to), want if up != down else x)
 
 
@@ -133,7 +141,9 @@ def test_merge_short_against_passes(spark):
             at += size
         rows += [(s, *r) for r in own]
         want[s] = merged(own, 15)
-    got = folds.merge_short(frame(spark, rows, "session long, start_frame long, end_frame long, confidence double, motion_magnitude double")).toPandas()
+    got = folds.merge_short(
+        frame(spark, rows, "session long, start_frame long, end_frame long, confidence double, motion_magnitude double")
+    ).toPandas()
     for s, w in want.items():
         assert np.allclose(got[got.session == s].sort_values("start_frame").drop(columns="session"), w)
 
@@ -143,7 +153,10 @@ def test_windows_of_blocks(spark):
     pcm = {1: rng.normal(size=100).tolist(), 2: [], 3: [1.0]}
     audio = frame(spark, list(pcm.items()), "session long, samples array<double>")
     rows = [(s, k, int(a)) for s in (1, 2, 3, 4) for k, a in enumerate((-3, 0, 5, 15, 16, 90, 99, 100, 500))]
-    got = intervals.block_windows(frame(spark, rows, "session long, frame long, at long"), intervals.sample_blocks(audio, 16), "at", 21, ["session", "frame"], 16).collect()
+    got = intervals.block_windows(
+        frame(spark, rows, "session long, frame long, at long"), intervals.sample_blocks(audio, 16), "at", 21,
+        ["session", "frame"], 16,
+    ).collect()
     assert len(got) == len(rows)
     for r in got:
         own = pcm.get(r["session"], [])[max(r["at"], 0) :][:21]
@@ -153,7 +166,9 @@ def test_windows_of_blocks(spark):
 def test_imu_stage_is_its_steps(spark):
     rng = np.random.default_rng(5)
     t = np.arange(60) / 100
-    x = np.concatenate((rng.normal(0, 0.3, (60, 2)), rng.normal(9.81, 0.1, (60, 1)), rng.normal(0, 0.5, (60, 3))), axis=1)
+    x = np.concatenate(
+        (rng.normal(0, 0.3, (60, 2)), rng.normal(9.81, 0.1, (60, 1)), rng.normal(0, 0.5, (60, 3))), axis=1
+    )
     rows = [(1, *map(float, (a, *b))) for a, b in zip(t, x)] + [(2, 0.0, 1.0, 2.0, 3.0, 0.0, 0.0, 0.0)]
     got = composites.imu_stage(frame(spark, rows, IMU)).toPandas()
     own = got[got.session == 1].sort_values("t")
@@ -176,7 +191,9 @@ def test_imu_stage_is_its_steps(spark):
 def test_audio_stage_is_its_steps(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=700)
-    audio = frame(spark, [(1, 48_000, x.tolist()), (2, 16_000, [0.0] * 50)], "session long, rate int, samples array<double>")
+    audio = frame(
+        spark, [(1, 48_000, x.tolist()), (2, 16_000, [0.0] * 50)], "session long, rate int, samples array<double>"
+    )
     times = [(1, k, k / 1000 - 0.001) for k in range(20)] + [(2, 0, 0.0)]
     got = composites.audio_stage(audio, frame(spark, times, "session long, frame long, t double"), block=64).toPandas()
     y = folds.resample(x, 48_000, 16_000)
@@ -191,13 +208,18 @@ def test_audio_stage_is_its_steps(spark):
 
 def test_flow_segments(spark):
     m = [(1, k, 5.0 if 10 <= k < 40 or 45 <= k < 50 else 0.5) for k in range(60)] + [(2, 0, 9.0)]
-    got = {(r["session"], r["start_frame"], r["end_frame"], r["confidence"], r["motion_magnitude"]) for r in composites.flow_segments(frame(spark, m, "session long, frame long, magnitude double")).collect()}
+    got = {
+        (r["session"], r["start_frame"], r["end_frame"], r["confidence"], r["motion_magnitude"])
+        for r in composites.flow_segments(frame(spark, m, "session long, frame long, magnitude double")).collect()
+    }
     assert (2, 0, 1, 0.5, 0.0) in got and [(a, b) for s, a, b, *_ in got if s == 1] == [(10, 50)]
 
 
 def test_gps_stage(spark):
     rows = [(1, float(k), 12.9 + max(0, k - 8) * 5e-4, 77.5) for k in range(20)]
-    got = composites.gps_stage(frame(spark, rows, "session long, t double, lat double, lon double"), fps=2.0).toPandas().sort_values("t")
+    got = composites.gps_stage(
+        frame(spark, rows, "session long, t double, lat double, lon double"), fps=2.0
+    ).toPandas().sort_values("t")
     assert len(got) == 39 and got["t"].iloc[-1] == 19.0
     assert got["is_stationary"].iloc[0] and not got["is_stationary"].iloc[-1] and got["segment_id"].iloc[-1] == 1
     assert got["place_name"].iloc[0] == "tile_12.900_77.500" and got["total_m"].is_monotonic_increasing
@@ -205,23 +227,34 @@ def test_gps_stage(spark):
 
 def test_align_streams_without_gps_and_audio(spark):
     frames = frame(spark, [(1, 0, 0.5), (2, 0, 0.0)], "session long, frame long, t double")
-    imu = frame(spark, [(1, 0.0, 0.0, 0, 0, 0, 0, 0), (1, 1.0, 2.0, 0, 0, 0, 0, 4)], "session long, t double, accel_x double, accel_y long, accel_z long, gyro_x long, gyro_y long, gyro_z long")
+    imu = frame(
+        spark, [(1, 0.0, 0.0, 0, 0, 0, 0, 0), (1, 1.0, 2.0, 0, 0, 0, 0, 4)],
+        "session long, t double, accel_x double, accel_y long, accel_z long, gyro_x long, gyro_y long, gyro_z long",
+    )
     got = {r["session"]: r for r in composites.align_streams(frames, imu, None, None).collect()}
-    assert got[1]["imu"] == [1.0, 0, 0, 0, 0, 2.0] and got[2]["imu"] == [0.0] * 6 and got[1]["gps"] == [0.0] * 6 and got[1]["audio"] == []
+    assert got[1]["imu"] == [
+        1.0, 0, 0, 0, 0, 2.0
+    ] and got[2]["imu"] == [0.0] * 6 and got[1]["gps"] == [0.0] * 6 and got[1]["audio"] == []
 
 
 def test_episode_round_trip(spark, tmp_path):
     rng = np.random.default_rng(9)
     rows = [(f"s{s}", e, k, rng.normal(size=10).tolist(), "उठाओ") for s in (1, 2) for e in (0, 1) for k in range(5 + e)]
-    df = frame(spark, rows, "session_id string, episode_index int, frame_index long, imu array<double>, instruction string")
+    df = frame(
+        spark, rows, "session_id string, episode_index int, frame_index long, imu array<double>, instruction string"
+    )
     path = str(tmp_path / "ep")
     writers.write_episodes(df, path, ("session_id", "episode_index"))
     back = episodes.load_episode(spark, path, "s2", 1).toPandas()
     want = {k: np.array(v) for s, e, k, v, _ in rows if (s, e) == ("s2", 1)}
-    assert back["frame_index"].tolist() == list(range(6)) and np.allclose(np.stack(back["imu"]), [want[k] for k in range(6)]) and (back["instruction"] == "उठाओ").all()
+    assert back["frame_index"].tolist() == list(range(6)) and np.allclose(
+        np.stack(back["imu"]), [want[k] for k in range(6)]
+    ) and (back["instruction"] == "उठाओ").all()
     assert np.allclose(back["timestamp"], np.arange(6) / 30) and list(back["gps"].iloc[0]) == [0.0] * 6
     q = np.array([want[k][6:] for k in range(6)])
-    assert np.allclose(np.stack(back["action"])[:, 3:], np.vstack((np.array([0, 0, 0, 1]) - q[0], np.diff(q, axis=0)))) and not np.stack(back["action"])[:, :3].any()
+    assert np.allclose(
+        np.stack(back["action"])[:, 3:], np.vstack((np.array([0, 0, 0, 1]) - q[0], np.diff(q, axis=0)))
+    ) and not np.stack(back["action"])[:, :3].any()
     listed = [tuple(r) for r in episodes.list_episodes(spark, path).collect()]
     assert listed == [("s1", 0, 5, "उठाओ"), ("s2", 0, 5, "उठाओ"), ("s1", 1, 6, "उठाओ"), ("s2", 1, 6, "उठाओ")]
     plan = episodes.list_episodes(spark, path)._jdf.queryExecution().executedPlan().toString()
@@ -231,45 +264,75 @@ def test_episode_round_trip(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.write_episodes(df.filter("false"), str(tmp_path / "none"))
     kept = str(tmp_path / "kept")
-    assert writers.delete_sessions(spark.read.parquet(path), kept, ["s1"]) == 11 and spark.read.parquet(kept).count() == 11
+    assert writers.delete_sessions(
+        spark.read.parquet(path), kept, ["s1"]
+    ) == 11 and spark.read.parquet(kept).count() == 11
 
 
 def test_cutting_skips_short_segments_and_numbers_the_rest(spark):
-    segs = frame(spark, [(1, 0, 0, 5), (1, 1, 5, 40), (1, 2, 40, 90)], "session long, segment long, start_frame long, end_frame long")
+    segs = frame(
+        spark, [(1, 0, 0, 5), (1, 1, 5, 40), (1, 2, 40, 90)],
+        "session long, segment long, start_frame long, end_frame long",
+    )
     lengths = frame(spark, [(1, 60)], "session long, n_frames long")
     texts = frame(spark, [(1, 0, "zero"), (1, 1, ""), (1, 5, "later")], "session long, ord long, text string")
-    got = [tuple(r) for r in episodes.cut_episodes(segs, lengths, texts, "default", base=7).orderBy("episode_index").select("segment", "start_frame", "end_frame", "episode_index", "instruction").collect()]
+    got = [
+        tuple(r) for r in episodes.cut_episodes(segs, lengths, texts, "default", base=7).orderBy("episode_index").select(
+            "segment", "start_frame", "end_frame", "episode_index", "instruction"
+        ).collect()
+    ]
     assert got == [(1, 5, 40, 7, ""), (2, 40, 60, 8, "later")]
 
 
 def test_actions_of_narrow_inertial_rows(spark):
     df = frame(spark, [(1, 0, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0])], "session long, frame_index long, imu array<double>")
-    assert episodes.derive_actions(df, 6).first()["action"] == [0, 0, 0, 0, 4, 5, 6] and episodes.derive_actions(df, 3).first()["action"] == [0.0] * 7
+    assert episodes.derive_actions(df, 6).first()["action"] == [
+        0, 0, 0, 0, 4, 5, 6
+    ] and episodes.derive_actions(df, 3).first()["action"] == [0.0] * 7
 
 
 def test_fixed_is_cs(spark):
     rng = np.random.default_rng(1)
-    values = [0.0, 1.0005, 0.0005, 0.0015, 2.5e-4, -1.0005, 12.9, 77.5625, 0.0625, 1e-9, 123456.7895, *rng.uniform(-200, 200, 500), *(np.round(rng.uniform(0, 90, 500), 3) + 0.0005)]
-    got = frame(spark, [(float(v),) for v in values], "v double").select(formats.fixed(F.col("v"), 3).alias("a"), formats.fixed(F.col("v"), 0).alias("b")).collect()
-    assert [r["a"] for r in got] == [f"{v:.3f}" for v in values] and [r["b"].lstrip("-") for r in got] == [f"{v:.0f}".lstrip("-") for v in values]
+    values = [
+        0.0, 1.0005, 0.0005, 0.0015, 2.5e-4, -1.0005, 12.9, 77.5625, 0.0625, 1e-9, 123456.7895,
+        *rng.uniform(-200, 200, 500), *(np.round(rng.uniform(0, 90, 500), 3) + 0.0005),
+    ]
+    got = frame(spark, [(float(v),) for v in values], "v double").select(
+        formats.fixed(F.col("v"), 3).alias("a"), formats.fixed(F.col("v"), 0).alias("b")
+    ).collect()
+    assert [r["a"] for r in got] == [f"{v:.3f}" for v in values] and [r["b"].lstrip("-") for r in got] == [
+        f"{v:.0f}".lstrip("-") for v in values
+    ]
 
 
 def test_places(spark):
-    fixes = frame(spark, [(1, 12.90004, 77.5, 0.0), (1, 12.90004, 77.5, 5.26), (1, 1.0, 2.0, 9.0), (2, 3.0, 4.0, None)], "session long, lat double, lon double, total_m double")
+    fixes = frame(
+        spark, [(1, 12.90004, 77.5, 0.0), (1, 12.90004, 77.5, 5.26), (1, 1.0, 2.0, 9.0), (2, 3.0, 4.0, None)],
+        "session long, lat double, lon double, total_m double",
+    )
     assert catalog.places_wanted(fixes).count() == 3
     names = "struct<neighbourhood:string,suburb:string,city_district:string,city:string,display_name:string>"
-    found = frame(spark, [(12.9, 77.5, ("", "Jayanagar", None, "B", "x")), (1.0, 2.0, (None, None, None, None, "d" * 70))], f"lat_r double, lon_r double, place {names}")
+    found = frame(
+        spark, [(12.9, 77.5, ("", "Jayanagar", None, "B", "x")), (1.0, 2.0, (None, None, None, None, "d" * 70))],
+        f"lat_r double, lon_r double, place {names}",
+    )
     tagged = catalog.tag_places(fixes, found)
-    assert sorted(r["place_name"] for r in tagged.collect()) == sorted(["Jayanagar"] * 2 + ["d" * 60, "tile_3.000_4.000"])
+    assert sorted(r["place_name"] for r in tagged.collect()) == sorted(
+        ["Jayanagar"] * 2 + ["d" * 60, "tile_3.000_4.000"]
+    )
     got = {r["session"]: r for r in catalog.gps_summary(tagged).collect()}
-    assert [tuple(x) for x in got[1]["top_places"]] == [(2, "Jayanagar"), (1, "d" * 60)] and got[1]["total_dist_m"] == 9.0 and got[2]["total_dist_m"] == 0.0
+    assert [
+        tuple(x) for x in got[1]["top_places"]
+    ] == [(2, "Jayanagar"), (1, "d" * 60)] and got[1]["total_dist_m"] == 9.0 and got[2]["total_dist_m"] == 0.0
 
 
 def test_radius_near_the_date_line(spark):
     rows = [(k, float(a), float(b)) for k, (a, b) in enumerate(((0, 179.99), (0, -179.99), (89.99, 0), (89.99, 180), (10, 20), (10, 20.05), (10, 21)))]
     df = frame(spark, rows, "id long, lat double, lon double")
     found = lambda a, b, m: [r["id"] for r in catalog.geo_radius(df, a, b, m).collect()]
-    assert sorted(found(0.0, 180.0, 5000.0)) == [0, 1] and sorted(found(89.995, 90.0, 5000.0)) == [2, 3] and found(10.0, 20.0, 6000.0) == [4, 5]
+    assert sorted(found(0.0, 180.0, 5000.0)) == [0, 1] and sorted(
+        found(89.995, 90.0, 5000.0)
+    ) == [2, 3] and found(10.0, 20.0, 6000.0) == [4, 5]
 
 
 def test_images(spark):
@@ -281,16 +344,29 @@ def test_images(spark):
         for a in range(8):
             for b in range(8):
                 block = y[a * h : (a + 1) * h, b * w : (b + 1) * w, :3].reshape(-1, min(y.shape[2], 3))
-                out += [*(block.mean(axis=0) if len(block) else np.zeros(block.shape[1])), *(block.std(axis=0) if len(block) else np.zeros(block.shape[1]))]
+                out += [
+                    *(block.mean(axis=0) if len(block) else np.zeros(block.shape[1])),
+                    *(block.std(axis=0) if len(block) else np.zeros(block.shape[1])),
+                ]
         want = np.pad(out, (0, 512 - len(out)))
         assert np.allclose(images.block_features(x), want / np.linalg.norm(want))
-    df = frame(spark, [(1, bytes(range(12)), 2, 2, 3), (2, None, 1, 1, 1)], "k long, image binary, height int, width int, channels int")
+    df = frame(
+        spark, [(1, bytes(range(12)), 2, 2, 3), (2, None, 1, 1, 1)],
+        "k long, image binary, height int, width int, channels int",
+    )
     got = {r["k"]: r["embedding"] for r in images.embed_images(df, ["k"]).collect()}
     assert len(got[1]) == 512 and got[2] is None
-    assert np.allclose({r["k"]: r["pixels"] for r in images.to_rgb(df).collect()}[1][:6], np.array([2, 1, 0, 5, 4, 3]) / 255)
-    v = frame(spark, [([[1.0, 2.0], [3.0, 6.0], [9.0, 9.0]], [1, 1, 0]), ([[1.0, 2.0]], [0])], "v array<array<double>>, m array<int>")
+    assert np.allclose(
+        {r["k"]: r["pixels"] for r in images.to_rgb(df).collect()}[1][:6], np.array([2, 1, 0, 5, 4, 3]) / 255
+    )
+    v = frame(
+        spark, [([[1.0, 2.0], [3.0, 6.0], [9.0, 9.0]], [1, 1, 0]), ([[1.0, 2.0]], [0])],
+        "v array<array<double>>, m array<int>",
+    )
     assert [r[0] for r in v.select(images.masked_mean(F.col("v"), F.col("m"))).collect()] == [[2.0, 4.0], [0.0, 0.0]]
-    one = frame(spark, [([0.485, 0.456, 0.406, 1.0],)], "p array<double>").select(images.normalised_pixels(F.col("p"))).first()[0]
+    one = frame(
+        spark, [([0.485, 0.456, 0.406, 1.0],)], "p array<double>"
+    ).select(images.normalised_pixels(F.col("p"))).first()[0]
     assert np.allclose(one, [0, 0, 0, (1 - 0.485) / 0.229])
 
 
@@ -299,25 +375,51 @@ def test_sources_and_sinks(spark, tmp_path):
     for name, body in (("a", {"session_id": "A", "start_time": 1.0}), ("b", {"session_id": "B"})):
         (meta / name).mkdir(parents=True)
         (meta / name / "metadata.json").write_text(json.dumps(body))
-    assert readers.find_session(spark, str(meta), "B").count() == 1 and readers.find_session(spark, str(meta), "C").count() == 0
+    assert readers.find_session(
+        spark, str(meta), "B"
+    ).count() == 1 and readers.find_session(spark, str(meta), "C").count() == 0
     (tmp_path / "times.csv").write_text("frame_index,timestamp\n1,0.5\n0,0.25\n")
-    assert [tuple(r) for r in readers.read_frame_times(spark, str(tmp_path / "times.csv")).collect()] == [(0, 0.25), (1, 0.5)]
+    assert [
+        tuple(r) for r in readers.read_frame_times(spark, str(tmp_path / "times.csv")).collect()
+    ] == [(0, 0.25), (1, 0.5)]
     assert readers.read_frame_times(spark, None, 3, 2.0, 1.0).collect()[2]["timestamp"] == 2.0
     with pytest.raises(ValueError):
         readers.read_frame_times(spark, None)
-    tasks = [{"id": 1, "data": {"session_id": "s", "segment_index": 4}, "annotations": [{"was_cancelled": True, "result": []}, {"result": [{"from_name": "quality", "value": {"rating": 3}}], "completed_by": 7}]}, {"id": 2, "data": {}, "annotations": []}]
+    tasks = [
+        {
+            "id": 1, "data": {"session_id": "s", "segment_index": 4},
+            "annotations": [
+                {"was_cancelled": True, "result": []},
+                {"result": [{"from_name": "quality", "value": {"rating": 3}}], "completed_by": 7},
+            ],
+        },
+        {"id": 2, "data": {}, "annotations": []},
+    ]
     (tmp_path / "tasks.json").write_text(json.dumps(tasks))
     pulled = labeling.pull_annotations(readers.read_tasks(spark, str(tmp_path / "tasks.json")))
     assert [(r["task_id"], r["segment_index"], r["annotator"]) for r in pulled.collect()] == [(1, 4, "7")]
-    assert labeling.annotation_index(pulled, ["task_id"]).first()["quality"] == 3 and labeling.of_session(pulled, "x").count() == 0 and labeling.of_session(pulled, None).count() == 1
+    assert labeling.annotation_index(
+        pulled, ["task_id"]
+    ).first()["quality"] == 3 and labeling.of_session(pulled, "x").count() == 0 and labeling.of_session(
+        pulled, None
+    ).count() == 1
     (tmp_path / "eps").mkdir()
     (tmp_path / "eps" / "a.json").write_text('{"frames": 9}')
     (tmp_path / "eps" / "b.json").write_text("{broken")
     read = readers.read_damaged(spark, str(tmp_path / "eps"), "frames long")
-    full = read.withColumns({f"has_{d}": F.lit(True) for d in validation.REQUIRED} | {c: F.lit(64) for c in ("height", "width")} | {"channels": F.lit(3), "instruction": F.lit("go"), "action_values": F.array(F.lit(0.0))} | {f"{m}_rows": F.col("frames") for m in ("audio", "imu", "action")})
-    assert [(r["path"][-6:], r["check"]) for r in validation.validate(full).collect()] == [("b.json", "open_file")] and validation.report(full).first()["invalid"] == 1
+    full = read.withColumns(
+        {f"has_{d}": F.lit(True) for d in validation.REQUIRED}
+        | {c: F.lit(64) for c in ("height", "width")}
+        | {"channels": F.lit(3), "instruction": F.lit("go"), "action_values": F.array(F.lit(0.0))}
+        | {f"{m}_rows": F.col("frames") for m in ("audio", "imu", "action")}
+    )
+    assert [
+        (r["path"][-6:], r["check"]) for r in validation.validate(full).collect()
+    ] == [("b.json", "open_file")] and validation.report(full).first()["invalid"] == 1
     x = np.sin(np.arange(160) / 9)
-    made = writers.write_wav(frame(spark, [("w", 8000, x.tolist())], "name string, rate int, samples array<double>"), str(tmp_path / "wav")).collect()
+    made = writers.write_wav(
+        frame(spark, [("w", 8000, x.tolist())], "name string, rate int, samples array<double>"), str(tmp_path / "wav")
+    ).collect()
     back = readers.read_wav(spark, made[0]["path"]).first()
     assert back["rate"] == 8000 and np.allclose(back["samples"], x, atol=1e-3)
     imu = frame(spark, [(1.0, 2.0), (2.0, 3.0)], "timestamp double, accel_x double")
@@ -327,8 +429,12 @@ def test_sources_and_sinks(spark, tmp_path):
     calls = []
     stages = [("a", lambda s: calls.append("a") or 1), ("b", lambda s: calls.append("b") or s["a"] + 1)]
     state = str(tmp_path / "state")
-    assert writers.run_stages(spark, state, stages) == {"a": 1, "b": 2} and writers.run_stages(spark, state, [*stages, ("c", lambda s: 5)])["c"] == 5 and calls == ["a", "b"]
-    assert [tuple(r) for r in writers.stage_table(spark, writers.load_state(spark, state), ["a", "z"]).collect()] == [("a", True, "1"), ("z", False, None)]
+    assert writers.run_stages(spark, state, stages) == {"a": 1, "b": 2} and writers.run_stages(
+        spark, state, [*stages, ("c", lambda s: 5)]
+    )["c"] == 5 and calls == ["a", "b"]
+    assert [
+        tuple(r) for r in writers.stage_table(spark, writers.load_state(spark, state), ["a", "z"]).collect()
+    ] == [("a", True, "1"), ("z", False, None)]
     raw = io.BytesIO()
     with zipfile.ZipFile(raw, "w") as z:
         z.writestr("s/x.csv", "1")
@@ -338,12 +444,21 @@ def test_sources_and_sinks(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.land(spark, raw.getvalue(), str(tmp_path / "land"))
     walk = readers.synthetic_gps(spark, 2, 50).toPandas()
-    assert len(walk) == 100 and (walk["speed_kmh"] >= 0).all() and walk["heading"].between(0, 360).all() and readers.synthetic_imu(spark, 2, 30).count() == 60
+    assert len(walk) == 100 and (
+        walk["speed_kmh"] >= 0
+    ).all() and walk["heading"].between(0, 360).all() and readers.synthetic_imu(spark, 2, 30).count() == 60
     with pytest.raises(NotImplementedError):
         readers.decode_video(imu)
-    files = frame(spark, [("s", "/x/episodes/episode_1.h5"), ("s", "/x/other.h5"), ("t", "/y/a.h5"), ("t", "/y/a.txt")], "session string, path string")
-    assert sorted(r["path"] for r in validation.episode_files(files).collect()) == ["/x/episodes/episode_1.h5", "/y/a.h5"]
-    assert [r["path"] for r in assembly.path_list([files.filter("session = 't'"), files.filter("session = 's'")]).collect()][0] == "/y/a.h5"
+    files = frame(
+        spark, [("s", "/x/episodes/episode_1.h5"), ("s", "/x/other.h5"), ("t", "/y/a.h5"), ("t", "/y/a.txt")],
+        "session string, path string",
+    )
+    assert sorted(
+        r["path"] for r in validation.episode_files(files).collect()
+    ) == ["/x/episodes/episode_1.h5", "/y/a.h5"]
+    assert [
+        r["path"] for r in assembly.path_list([files.filter("session = 't'"), files.filter("session = 's'")]).collect()
+    ][0] == "/y/a.h5"
 
 
 def test_wav_widths(tmp_path):
@@ -354,7 +469,12 @@ def test_wav_widths(tmp_path):
             x = np.array([0.5, -0.5, 0.25, -0.25] * channels)
             full = 1 << (8 * width - 1)
             ints = [int(v * full) for v in x]
-            data = b"".join((i + 128).to_bytes(1, "little") if width == 1 else i.to_bytes(width, "little", signed=True) for i in ints)
+            data = b"".join(
+                (i + 128).to_bytes(1, "little")
+                if width == 1
+                else i.to_bytes(width, "little", signed=True)
+                for i in ints
+            )
             out = io.BytesIO()
             with wave.open(out, "wb") as w:
                 w.setnchannels(channels)
@@ -366,44 +486,77 @@ def test_wav_widths(tmp_path):
 
 
 def test_concatenated_audio_and_chunks(spark):
-    chunks = frame(spark, [(1, 0, 8, [0.5, -1.0]), (1, 2, 8, [2.0]), (1, 1, 16, [9.0])], "session long, chunk long, rate int, samples array<double>")
+    chunks = frame(
+        spark, [(1, 0, 8, [0.5, -1.0]), (1, 2, 8, [2.0]), (1, 1, 16, [9.0])],
+        "session long, chunk long, rate int, samples array<double>",
+    )
     got = assembly.concat_audio(chunks).first()
     assert got["samples"] == [0.25, -0.5, 1.0] and got["rate"] == 8
-    rows = frame(spark, [(1, 0, 0, 1.0, "a"), (1, 1, 0, 1.0, "b"), (1, 1, 1, 2.0, "c")], "session long, chunk long, row long, timestamp double, v string")
+    rows = frame(
+        spark, [(1, 0, 0, 1.0, "a"), (1, 1, 0, 1.0, "b"), (1, 1, 1, 2.0, "c")],
+        "session long, chunk long, row long, timestamp double, v string",
+    )
     assert sorted(r["v"] for r in assembly.series_of_chunks(rows).collect()) == ["a", "c"]
     both = assembly.concat_frames([rows.select("session", "v"), rows.select("session", "chunk")])
     assert both.count() == 6 and both.filter("v is null").count() == 3
-    assert [tuple(r) for r in assembly.video_manifest(frame(spark, [(1, 5, "b"), (1, 2, "a")], "session long, chunk long, video string")).collect()] == [(1, 0, "a"), (1, 1, "b")]
+    assert [
+        tuple(r) for r in assembly.video_manifest(
+            frame(spark, [(1, 5, "b"), (1, 2, "a")], "session long, chunk long, video string")
+        ).collect()
+    ] == [(1, 0, "a"), (1, 1, "b")]
 
 
 def test_prediction_by_place(spark):
     tasks = frame(spark, [(1, 0), (1, 1)], "session long, segment long")
-    labels = frame(spark, [(1, 0, "idle", "general", "x", "y", 0.5)], "session long, segment long, action_type string, scenario string, instruction_hi string, instruction_en string, confidence double")
+    labels = frame(
+        spark, [(1, 0, "idle", "general", "x", "y", 0.5)],
+        "session long, segment long, action_type string, scenario string, instruction_hi string, instruction_en string, confidence double",
+    )
     got = {r["segment"]: r["prediction"] for r in labeling.with_predictions(tasks, labels).collect()}
     assert json.loads(got[0])["result"][0]["value"] == "idle" and got[1] is None
-    assert labeling.task_fields(labels).columns == ["action_type", "scenario", "instruction_hi", "instruction_en", "confidence"]
+    assert labeling.task_fields(labels).columns == [
+        "action_type", "scenario", "instruction_hi", "instruction_en", "confidence"
+    ]
 
 
 def test_tile_and_position_text(spark):
-    row = frame(spark, [(12.34567, -0.0005)], "lat double, lon double").select(geo.tile_name(F.col("lat"), F.col("lon")), formats.path_time(F.lit("2024-03-05 06:07:08").cast("timestamp")), formats.data_url(F.lit(b"ab"))).first()
+    row = frame(spark, [(12.34567, -0.0005)], "lat double, lon double").select(
+        geo.tile_name(F.col("lat"), F.col("lon")), formats.path_time(F.lit("2024-03-05 06:07:08").cast("timestamp")),
+        formats.data_url(F.lit(b"ab")),
+    ).first()
     assert row[0] == f"tile_{12.34567:.3f}_{-0.0005:.3f}" and row[1] == "2024-03-05-0607" and row[2] == "data:image/jpeg;base64,YWI="
 
 
 def test_tasks_and_records(spark, tmp_path):
     frames = frame(spark, [(1, k, bytes([k])) for k in range(5)], "session long, frame long, jpeg binary")
-    segs = frame(spark, [(1, 0, 0, 4, 0.5), (1, 1, 4, 90, None)], "session long, segment long, start_frame long, end_frame long, confidence double")
-    labels = frame(spark, [(1, 0, "idle", "general", "x", "y", 0.5)], "session long, segment long, action_type string, scenario string, instruction_hi string, instruction_en string, confidence double")
+    segs = frame(
+        spark, [(1, 0, 0, 4, 0.5), (1, 1, 4, 90, None)],
+        "session long, segment long, start_frame long, end_frame long, confidence double",
+    )
+    labels = frame(
+        spark, [(1, 0, "idle", "general", "x", "y", 0.5)],
+        "session long, segment long, action_type string, scenario string, instruction_hi string, instruction_en string, confidence double",
+    )
     got = {r["segment"]: json.loads(r["task"]) for r in labeling.segment_tasks(segs, frames, labels).collect()}
-    assert got[0]["data"]["frame_index"] == 2 and got[0]["data"]["image"] == "data:image/jpeg;base64,Ag==" and got[0]["predictions"][0]["score"] == 0.5
+    assert got[0]["data"][
+        "frame_index"
+    ] == 2 and got[0]["data"]["image"] == "data:image/jpeg;base64,Ag==" and got[0]["predictions"][0]["score"] == 0.5
     assert got[1]["data"]["frame_index"] == 4 and got[1]["data"]["confidence"] == 0.0 and "predictions" not in got[1]
     tasks = labeling.frame_tasks(frames.withColumnsRenamed({"session": "session_id", "frame": "frame_index"}))
     assert json.loads(tasks.first()["task"])["data"]["frame_index"] == 0
     assert writers.task_batches(tasks, "frame_index", 2).groupBy("batch").count().agg(F.max("count")).first()[0] <= 2
-    parts = frame(spark, [(1, 1, "b", 1.23456, 2.0, None, 0.55555), (1, 0, "a", 0.0, 1.0, "hi", 1.0)], "session long, ord long, text string, start double, end double, language string, confidence double")
+    parts = frame(
+        spark, [(1, 1, "b", 1.23456, 2.0, None, 0.55555), (1, 0, "a", 0.0, 1.0, "hi", 1.0)],
+        "session long, ord long, text string, start double, end double, language string, confidence double",
+    )
     told = transcripts.transcription(transcripts.records(parts)).first()
     assert told["text"] == "a b" and told["language"] == "hi" and told["segments"][1]["start"] == 1.235
-    assert series.segment_records(frame(spark, [(0.123456, 2.0)], "confidence double, motion_magnitude double")).first()["confidence"] == 0.1235
-    assert [r["frame"] for r in series.first_rows(frames, ["frame"], 2).collect()] == [0, 1] and series.first_rows(frames, ["frame"], 2, "session").count() == 2
+    assert series.segment_records(
+        frame(spark, [(0.123456, 2.0)], "confidence double, motion_magnitude double")
+    ).first()["confidence"] == 0.1235
+    assert [
+        r["frame"] for r in series.first_rows(frames, ["frame"], 2).collect()
+    ] == [0, 1] and series.first_rows(frames, ["frame"], 2, "session").count() == 2
     writers.write_results(str(tmp_path / "out"), segments=segs, transcription=parts)
     assert spark.read.json(str(tmp_path / "out" / "segments")).count() == 2
     writers.write_session_meta(segs, str(tmp_path / "meta"), "2024-01-01")
@@ -412,6 +565,11 @@ def test_tasks_and_records(spark, tmp_path):
 
 def test_jobs(spark):
     new = jobs.queue_jobs(frame(spark, [("j", "s", 1), ("k", "t", 1)], "job_id string, session_id string, now long"))
-    updates = frame(spark, [("j", 3, "running", None), ("j", 5, None, "down"), ("j", 4, "failed", None), ("x", 9, "done", None)], "job_id string, updated_at long, status string, error string")
+    updates = frame(
+        spark, [("j", 3, "running", None), ("j", 5, None, "down"), ("j", 4, "failed", None), ("x", 9, "done", None)],
+        "job_id string, updated_at long, status string, error string",
+    )
     got = {r["job_id"]: r for r in jobs.advance(new, updates).collect()}
-    assert (got["j"]["status"], got["j"]["error"], got["j"]["updated_at"], got["j"]["stage"]) == ("failed", "down", 5, "queued") and got["k"]["updated_at"] == 1 and len(got) == 2
+    assert (
+        got["j"]["status"], got["j"]["error"], got["j"]["updated_at"], got["j"]["stage"]
+    ) == ("failed", "down", 5, "queued") and got["k"]["updated_at"] == 1 and len(got) == 2

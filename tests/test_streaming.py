@@ -27,7 +27,9 @@ class Feed:
     def drain(self):
         made = []
         stream = self.build(self.spark.readStream.schema(self.schema).json(str(self.folder / "in")))
-        writer = stream.writeStream.foreachBatch(lambda batch, _: made.extend(batch.collect())).outputMode(self.mode).option("checkpointLocation", str(self.folder / "state"))
+        writer = stream.writeStream.foreachBatch(lambda batch, _: made.extend(batch.collect())).outputMode(self.mode).option(
+            "checkpointLocation", str(self.folder / "state")
+        )
         query = writer.trigger(availableNow=True).start()
         assert query.awaitTermination(120)
         self.seen += made
@@ -35,7 +37,12 @@ class Feed:
 
 
 def files(session, chunk, roles, minute=0):
-    return [{"session_id": session, "chunk_index": chunk, "role": r, "path": "p", "received": f"2024-01-01T00:{minute:02d}:00Z"} for r in roles]
+    return [
+        {
+            "session_id": session, "chunk_index": chunk, "role": r, "path": "p",
+            "received": f"2024-01-01T00:{minute:02d}:00Z",
+        } for r in roles
+    ]
 
 
 def test_complete_chunks_are_exact(spark, tmp_path):
@@ -63,8 +70,16 @@ def test_counters_and_latest(spark, tmp_path):
     feed.drain()
     feed.put(files("a", 7, ["x"]))
     assert [tuple(r) for r in feed.drain()] == [("a", 3, 7)]
-    fixes = Feed(spark, tmp_path / "b", ingest.latest_fix, "session_id string, timestamp double, lat double, lon double", "update")
-    fixes.put([{"session_id": "a", "timestamp": 2.0, "lat": 1.0, "lon": 2.0}, {"session_id": "a", "timestamp": 1.0, "lat": 9.0, "lon": 9.0}])
+    fixes = Feed(
+        spark, tmp_path / "b", ingest.latest_fix, "session_id string, timestamp double, lat double, lon double",
+        "update",
+    )
+    fixes.put(
+        [
+            {"session_id": "a", "timestamp": 2.0, "lat": 1.0, "lon": 2.0},
+            {"session_id": "a", "timestamp": 1.0, "lat": 9.0, "lon": 9.0},
+        ]
+    )
     assert [(r["fix"]["lat"], r["timestamp"]) for r in fixes.drain()] == [(1.0, 2.0)]
 
 
@@ -81,12 +96,18 @@ def test_tumbling_windows_close_with_the_watermark(spark, tmp_path):
 
 
 def test_sentences_pair_once(spark, tmp_path):
-    lines = ["$GPRMC,1,A,1258.2,N,07735.4,E,10.0,90.0,x*00", "$GPRMC,2,A,1258.2,N,07735.4,E,20.0,91.0,x*00", "$GPGGA,2,1258.2,N,07735.4,E,1,7,1.0,900.5,M*00", "$GPRMC,3,V,1258.2,N,07735.4,E,20.0,91.0,x*00", "$GPGGA,3,1258.2,N,07735.4,E,1,8,1.0,901.5,M*00"]
+    lines = [
+        "$GPRMC,1,A,1258.2,N,07735.4,E,10.0,90.0,x*00", "$GPRMC,2,A,1258.2,N,07735.4,E,20.0,91.0,x*00",
+        "$GPGGA,2,1258.2,N,07735.4,E,1,7,1.0,900.5,M*00", "$GPRMC,3,V,1258.2,N,07735.4,E,20.0,91.0,x*00",
+        "$GPGGA,3,1258.2,N,07735.4,E,1,8,1.0,901.5,M*00",
+    ]
     parse = lambda s: ingest.pair_sentences(readers.parse_nmea(s))
     feed = Feed(spark, tmp_path, parse, "session_id string, seq long, line string")
     feed.put([{"session_id": "a", "seq": k, "line": x} for k, x in enumerate(lines)])
     got = feed.drain()
-    assert len(got) == 1 and abs(got[0]["speed_kmh"] - 37.04) < 1e-9 and got[0]["alt"] == 900.5 and got[0]["utc"] == "2" and abs(got[0]["lat"] - 12.97) < 1e-9
+    assert len(got) == 1 and abs(
+        got[0]["speed_kmh"] - 37.04
+    ) < 1e-9 and got[0]["alt"] == 900.5 and got[0]["utc"] == "2" and abs(got[0]["lat"] - 12.97) < 1e-9
     feed.put([{"session_id": "a", "seq": 9, "line": "$GPRMC,9,A,1258.2,S,07735.4,W,1.0,1.0,x*00"}])
     got = feed.drain()  # pairs with the position report held since the first batch
     assert [(r["utc"], r["alt"]) for r in got] == [("9", 901.5)] and got[0]["lat"] < 0 and got[0]["lon"] < 0
@@ -139,16 +160,34 @@ def test_batches_replay_after_a_failure(spark, tmp_path):
 
 def test_simulated_stream(spark, tmp_path):
     stream = ingest.simulated_imu(spark, 50)
-    assert stream.isStreaming and set(stream.columns) == {"timestamp", "seq", "accel_x", "accel_y", "accel_z", "gyro_x", "gyro_y", "gyro_z"}
+    assert stream.isStreaming and set(stream.columns) == {
+        "timestamp", "seq", "accel_x", "accel_y", "accel_z", "gyro_x", "gyro_y", "gyro_z"
+    }
 
 
 def test_uploads_of_a_small_queue(spark):
-    q = spark.createDataFrame([("a", 1, "pending"), ("a", 2, "uploading"), ("a", 3, "done"), ("a", 4, "failed")], "session_id string, chunk_index int, status string")
-    more = ingest.enqueue(q, spark.createDataFrame([("a", 4), ("a", 5), ("a", 5)], "session_id string, chunk_index int"))
-    assert {r["chunk_index"]: r["status"] for r in more.collect()} == {1: "pending", 2: "uploading", 3: "done", 4: "failed", 5: "pending"}
-    told = spark.createDataFrame(pd.DataFrame({"session_id": "a", "chunk_index": [1, 2, 3, 5], "started": True, "ok": [True, False, False, None]}), "session_id string, chunk_index int, started boolean, ok boolean")
+    q = spark.createDataFrame(
+        [("a", 1, "pending"), ("a", 2, "uploading"), ("a", 3, "done"), ("a", 4, "failed")],
+        "session_id string, chunk_index int, status string",
+    )
+    more = ingest.enqueue(
+        q, spark.createDataFrame([("a", 4), ("a", 5), ("a", 5)], "session_id string, chunk_index int")
+    )
+    assert {r["chunk_index"]: r["status"] for r in more.collect()} == {
+        1: "pending", 2: "uploading", 3: "done", 4: "failed", 5: "pending"
+    }
+    told = spark.createDataFrame(
+        pd.DataFrame(
+            {"session_id": "a", "chunk_index": [1, 2, 3, 5], "started": True, "ok": [True, False, False, None]}
+        ),
+        "session_id string, chunk_index int, started boolean, ok boolean",
+    )
     after = ingest.settle(more, told)
-    assert {r["chunk_index"]: r["status"] for r in after.collect()} == {1: "done", 2: "failed", 3: "done", 4: "failed", 5: "uploading"}
-    assert [r["chunk_index"] for r in ingest.unfinished(after).collect()] == [5] and ingest.pending_count(after).first()["queued"] == 0
+    assert {r["chunk_index"]: r["status"] for r in after.collect()} == {
+        1: "done", 2: "failed", 3: "done", 4: "failed", 5: "uploading"
+    }
+    assert [
+        r["chunk_index"] for r in ingest.unfinished(after).collect()
+    ] == [5] and ingest.pending_count(after).first()["queued"] == 0
     assert tuple(ingest.upload_stats(after).first())[1:] == (0, 2, 2)
     assert after.filter(F.col("status") == "uploading").count() == 1

@@ -31,7 +31,11 @@ def slots(text):
         if t in tx.VOCABULARY:
             n[tx.VOCABULARY.index(t)] += 1
         for j in range(len(t) - 1):
-            n[len(tx.VOCABULARY) + int(hashlib.md5(t[j : j + 2].encode()).hexdigest(), 16) % (tx.DIMENSIONS - len(tx.VOCABULARY))] += 1
+            n[
+                len(tx.VOCABULARY) + int(
+                    hashlib.md5(t[j : j + 2].encode()).hexdigest(), 16
+                ) % (tx.DIMENSIONS - len(tx.VOCABULARY))
+            ] += 1
     return n
 
 
@@ -40,15 +44,24 @@ def label(text, table):
 
 
 def test_labels_of_whole_texts(spark, tmp_path):
-    docs = [(1, "x " * 500 + "UNLOCK"), (2, "x " * 500 + "shelf"), (3, "x" * 59 + " रखो"), (4, None), (5, ""), (6, "x " * 500)]
+    docs = [
+        (1, "x " * 500 + "UNLOCK"), (2, "x " * 500 + "shelf"), (3, "x" * 59 + " रखो"), (4, None), (5, ""),
+        (6, "x " * 500),
+    ]
     got = run(spark, "action_scenario_label", tmp_path, documents=(docs, DOCS)).set_index("doc_id")
-    assert got.action_type.to_dict() == {1: "open_door", 2: "other", 3: "put_down", 4: "idle", 5: "other", 6: "navigate"}
+    assert got.action_type.to_dict() == {
+        1: "open_door", 2: "other", 3: "put_down", 4: "idle", 5: "other", 6: "navigate"
+    }
     assert got.scenario[2] == "warehouse" and got.action_conf[1] == 0.85
     made = core.queries()["instruction_build"](spark, str(tmp_path)).toPandas().set_index("doc_id")
     assert made.instruction_hi[1] == docs[0][1] and made.instruction_en[3] == docs[2][1].replace("रखो", "put down")
     n = core.queries()["auto_label_summary"](spark, str(tmp_path)).toPandas()
-    assert (n[n.value.isin(["open_door", "put_down", "warehouse"])].n == 1).all() and n.value.isin(["open_door", "put_down", "warehouse"]).sum() == 3
-    assert "open_door" in core.queries()["prediction_json"](spark, str(tmp_path)).filter("doc_id = 1").first()["prediction"]
+    assert (
+        n[n.value.isin(["open_door", "put_down", "warehouse"])].n == 1
+    ).all() and n.value.isin(["open_door", "put_down", "warehouse"]).sum() == 3
+    assert "open_door" in core.queries()["prediction_json"](
+        spark, str(tmp_path)
+    ).filter("doc_id = 1").first()["prediction"]
 
 
 def test_labels_of_all_documents(spark):
@@ -63,7 +76,9 @@ def test_labels_of_all_documents(spark):
 def test_terms_of_whole_texts(spark, tmp_path):
     docs = [(1, "a-b " * 60 + "Pick the BOX उठाओ"), (2, None), (3, "पिक x"), (4, "İstanbul KelvinK ſort 😀go")]
     got = run(spark, "embed_text_tf", tmp_path, documents=(docs, DOCS))
-    assert {(r.doc_id, r.slot): r.n for r in got.itertuples()} == {(k, s): n for k, t in docs for s, n in slots(t).items()}
+    assert {(r.doc_id, r.slot): r.n for r in got.itertuples()} == {
+        (k, s): n for k, t in docs for s, n in slots(t).items()
+    }
     whole = pd.read_parquet(f"{SF}/documents.parquet")
     got = core.queries()["embed_text_tf"](spark, SF).toPandas()
     want = {(k, s): (n, c) for k, t in zip(whole.doc_id, whole.text) for c in [slots(t)] for s, n in c.items()}
@@ -95,8 +110,13 @@ def test_overlaps_of_whole_conversations(spark, tmp_path):
 def test_windows_of_all_frames(spark, tmp_path):
     t0 = pd.Timestamp("2024-01-01")
     events = [(k, 3 if k < 70 else 900, (t0 + pd.Timedelta(seconds=k)).to_pydatetime(), k / 4, "a") for k in range(100)]
-    got = run(spark, "audio_window", tmp_path, events=(events, "event_id long, user_id long, ts timestamp_ntz, value double, event_type string"))
-    want = {(u, k - (70 if u == 900 else 0)): (v * 2, 0.0 if k in (69, 99) else v * 2 + 0.5) for k, u, _, v, _ in events}
+    got = run(
+        spark, "audio_window", tmp_path,
+        events=(events, "event_id long, user_id long, ts timestamp_ntz, value double, event_type string"),
+    )
+    want = {
+        (u, k - (70 if u == 900 else 0)): (v * 2, 0.0 if k in (69, 99) else v * 2 + 0.5) for k, u, _, v, _ in events
+    }
     assert len(got) == 100 and {(r.session, r.frame): (r.w0, r.w1) for r in got.itertuples()} == want
 
 
@@ -116,7 +136,9 @@ def test_split_of_all_episodes(spark, tmp_path):
 
 def test_split_counts_rows_not_keys(spark):
     for n, share in ((0, 0.8), (1, 0.8), (1, 0.0), (7, 0.29), (500, 0.29), (500, 1.0)):
-        df = spark.createDataFrame([(f"é{k % 37:03d}" if k % 11 else None, k % 5, k) for k in range(n)], "a string, b long, k long")
+        df = spark.createDataFrame(
+            [(f"é{k % 37:03d}" if k % 11 else None, k % 5, k) for k in range(n)], "a string, b long, k long"
+        )
         got = series.train_share(df, ["a", "b"], share, 8, 64).toPandas()
         keys = [((r.a is not None and r.a == r.a, r.a if isinstance(r.a, str) else ""), r.b) for r in got.itertuples()]
         train = [k for k, s in zip(keys, got.split) if s == "train"]
@@ -131,11 +153,15 @@ def test_split_has_no_global_window(spark):
 
 def test_literals_of_whole_vectors(spark, tmp_path):
     vectors = [(1, [k / 7 for k in range(64)]), (2, [0.0] * 63 + [1.5]), (3, None)]
-    got = run(spark, "vector_literal", tmp_path, embeddings=(vectors, "vec_id long, embedding array<float>")).set_index("vec_id").literal
+    got = run(
+        spark, "vector_literal", tmp_path, embeddings=(vectors, "vec_id long, embedding array<float>")
+    ).set_index("vec_id").literal
     assert got[2] == "[" + "0.00000000," * 63 + "1.50000000]" and got[3] is None
     real = pd.read_parquet(f"{SF}/embeddings.parquet")
     got = core.queries()["vector_literal"](spark, SF).toPandas().set_index("vec_id").literal
-    assert got.to_dict() == {k: "[" + ",".join(f"{x:.8f}" for x in v) + "]" for k, v in zip(real.vec_id, real.embedding)}
+    assert got.to_dict() == {
+        k: "[" + ",".join(f"{x:.8f}" for x in v) + "]" for k, v in zip(real.vec_id, real.embedding)
+    }
 
 
 def test_tokens_and_mask(spark, tmp_path):
@@ -143,7 +169,11 @@ def test_tokens_and_mask(spark, tmp_path):
     ids = lambda t: ",".join(str(ord(c) % 32000) for c in t[:50].ljust(50, "\0"))
     mask = lambda t: ",".join(str(int(k < len(t))) for k in range(50))
     got = run(spark, "tokenize_codepoints", tmp_path, documents=(docs, DOCS))
-    assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {k: (ids(t or ""), mask(t or "")) for k, t in docs}
+    assert {
+        r.doc_id: (r.tokens, r.mask) for r in got.itertuples()
+    } == {k: (ids(t or ""), mask(t or "")) for k, t in docs}
     real = pd.read_parquet(f"{SF}/documents.parquet")
     got = core.queries()["tokenize_codepoints"](spark, SF).toPandas()
-    assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {k: (ids(t), mask(t)) for k, t in zip(real.doc_id, real.text)}
+    assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {
+        k: (ids(t), mask(t)) for k, t in zip(real.doc_id, real.text)
+    }

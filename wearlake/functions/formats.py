@@ -21,11 +21,15 @@ def fixed(x: Column, digits: int) -> Column:
     lack = (head * scale - product) + (x - head) * scale
     whole = F.rint(product)
     tie = F.abs(product - whole) == 0.5
-    whole = F.when(tie & (lack > 0), F.ceil(product).cast("double")).when(tie & (lack < 0), F.floor(product).cast("double")).otherwise(whole)
+    whole = F.when(tie & (lack > 0), F.ceil(product).cast("double")).when(
+        tie & (lack < 0), F.floor(product).cast("double")
+    ).otherwise(whole)
     n = F.abs(whole).cast("long")
     sign = F.when(x < 0, "-").otherwise("")
     parts = [sign, F.floor(n / F.lit(10**digits)).cast("long").cast("string") if digits else n.cast("string")]
-    return F.concat(*parts, F.lit("."), F.lpad((n % 10**digits).cast("string"), digits, "0")) if digits else F.concat(*parts)
+    return F.concat(
+        *parts, F.lit("."), F.lpad((n % 10**digits).cast("string"), digits, "0")
+    ) if digits else F.concat(*parts)
 
 
 def session_name_ok(name: Column) -> Column:
@@ -42,7 +46,10 @@ def clock(seconds: Column) -> Column:
     """mm:ss of whole seconds."""
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
     minutes = F.floor(seconds / 60).cast("long")
-    return F.concat(F.when(minutes < 100, two(minutes)).otherwise(minutes.cast("string")), F.lit(":"), two((seconds % 60).cast("long")))
+    return F.concat(
+        F.when(minutes < 100, two(minutes)).otherwise(minutes.cast("string")), F.lit(":"),
+        two((seconds % 60).cast("long")),
+    )
 
 
 def path_time(ts: Column) -> Column:
@@ -52,14 +59,18 @@ def path_time(ts: Column) -> Column:
 
 def confidence(n_tokens: Column, avg_logprob: Column) -> Column:
     """0.5 without tokens, else e to the mean log-probability (-0.5 if missing), in [0, 1]."""
-    return F.when(F.coalesce(n_tokens, F.lit(0)) == 0, 0.5).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(F.coalesce(avg_logprob, F.lit(-0.5))))))
+    return F.when(F.coalesce(n_tokens, F.lit(0)) == 0, 0.5).otherwise(
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(F.coalesce(avg_logprob, F.lit(-0.5)))))
+    )
 
 
 def learning_rate(step: Column, steps: int, top: float = 3e-4, warm_up: int = 500, least: float = 1e-6) -> Column:
     """The rate that step ``step`` (from 0) leaves: linear up to ``top`` over ``warm_up`` steps, then down half a cosine
     whose period is ``steps``."""
     turn = F.pi() * (step - warm_up + 1) / max(1, steps)
-    return F.when(step < warm_up, F.lit(top) * (step + 1) / max(1, warm_up)).otherwise(least + F.lit((top - least) / 2) * (1 + F.cos(turn)))
+    return F.when(
+        step < warm_up, F.lit(top) * (step + 1) / max(1, warm_up)
+    ).otherwise(least + F.lit((top - least) / 2) * (1 + F.cos(turn)))
 
 
 def data_url(jpeg: Column) -> Column:

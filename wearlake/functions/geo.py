@@ -51,5 +51,7 @@ def wkt_point(lat: Column, lon: Column) -> Column:
 
 def wkt_line(points: Column) -> Column:
     """LINESTRING of an array of (lat, lon) structs; null under two points."""
-    body = F.array_join(F.transform(points, lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string"))), ", ")
+    body = F.array_join(
+        F.transform(points, lambda p: F.concat_ws(" ", p["lon"].cast("string"), p["lat"].cast("string"))), ", "
+    )
     return F.when(F.size(points) >= 2, F.concat(F.lit("LINESTRING("), body, F.lit(")")))

@@ -40,7 +40,10 @@ TEMPLATES = {
 }
 DEFAULT_TEMPLATE = ("कार्य करो", "Perform task")
 # fixed values: word swaps, applied one after the other
-HINTS = [("उठाओ", "pick up"), ("रखो", "put down"), ("दो", "give"), ("खोलो", "open"), ("बंद", "close"), ("चलो", "go"), ("स्कैन", "scan"), ("पैसे", "payment"), ("रुको", "wait")]
+HINTS = [
+    ("उठाओ", "pick up"), ("रखो", "put down"), ("दो", "give"), ("खोलो", "open"), ("बंद", "close"), ("चलो", "go"),
+    ("स्कैन", "scan"), ("पैसे", "payment"), ("रुको", "wait"),
+]
 # fixed values: embedding vocabulary, in slot order
 VOCABULARY = (
     "pick", "place", "carry", "deliver", "move", "push", "pull", "open", "close", "turn", "fold", "stack", "sort",
@@ -79,8 +82,12 @@ def scenario_word(lowered: Column) -> Column:
 
 def action(word: Column, motion: Column, stationary: Column) -> tuple[Column, Column]:
     """(action_type, confidence): the keyword's action, else from motion."""
-    kind = F.coalesce(word, F.when(stationary, "idle").when(motion.isin("high", "medium"), "navigate").otherwise("other"))
-    sure = F.when(word.isNotNull(), 0.85).when(stationary, 0.6).when(motion == "high", 0.5).when(motion == "medium", 0.4).otherwise(0.3)
+    kind = F.coalesce(
+        word, F.when(stationary, "idle").when(motion.isin("high", "medium"), "navigate").otherwise("other")
+    )
+    sure = F.when(word.isNotNull(), 0.85).when(stationary, 0.6).when(motion == "high", 0.5).when(
+        motion == "medium", 0.4
+    ).otherwise(0.3)
     return kind, sure
 
 
@@ -92,8 +99,12 @@ def scenario(word: Column, speed_kmh: Column, default: str) -> Column:
 def motion_level(magnitude: Column, frames: Column) -> tuple[Column, Column]:
     """(level, confidence) of a mean flow magnitude; under two frames low with 0.4, without a magnitude low with 0.3."""
     few = frames <= 1
-    level = F.when(few | magnitude.isNull(), "low").when(magnitude > 8, "high").when(magnitude > 2, "medium").otherwise("low")
-    return level, F.when(few, 0.4).when(magnitude.isNull(), 0.3).when(magnitude > 8, 0.8).when(magnitude > 2, 0.7).otherwise(0.6)
+    level = F.when(
+        few | magnitude.isNull(), "low"
+    ).when(magnitude > 8, "high").when(magnitude > 2, "medium").otherwise("low")
+    return level, F.when(few, 0.4).when(
+        magnitude.isNull(), 0.3
+    ).when(magnitude > 8, 0.8).when(magnitude > 2, 0.7).otherwise(0.6)
 
 
 def hint(text: Column, action_type: Column) -> Column:
@@ -105,7 +116,10 @@ def hint(text: Column, action_type: Column) -> Column:
 
 def instructions(text: Column, action_type: Column) -> tuple[Column, Column]:
     """(Hindi, English): a text of over 3 characters and its hint, else the action's template."""
-    pick = lambda k: F.coalesce(F.create_map(*(F.lit(x) for a, t in TEMPLATES.items() for x in (a, t[k])))[action_type], F.lit(DEFAULT_TEMPLATE[k]))
+    pick = lambda k: F.coalesce(
+        F.create_map(*(F.lit(x) for a, t in TEMPLATES.items() for x in (a, t[k])))[action_type],
+        F.lit(DEFAULT_TEMPLATE[k]),
+    )
     said = F.coalesce(F.length(text) > 3, F.lit(False))
     return F.when(said, text).otherwise(pick(0)), F.when(said, hint(text, action_type)).otherwise(pick(1))
 
@@ -126,7 +140,9 @@ def embed_terms(text: Column) -> Column:
     index = F.create_map(*(F.lit(x) for k, w in enumerate(VOCABULARY) for x in (w, k)))
     tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
     words = F.filter(F.transform(tokens, lambda t: index[t].cast("long")), lambda x: x.isNotNull())
-    grams = lambda t: F.when(F.length(t) > 1, F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda j: F.substring(t, j, F.lit(2)))).otherwise(F.array().cast("array<string>"))
+    grams = lambda t: F.when(
+        F.length(t) > 1, F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda j: F.substring(t, j, F.lit(2)))
+    ).otherwise(F.array().cast("array<string>"))
     pairs = F.flatten(F.transform(tokens, grams))
     return F.concat(words, F.transform(pairs, lambda b: md5_slot(b, DIMENSIONS - size) + size))
 
@@ -134,9 +150,16 @@ def embed_terms(text: Column) -> Column:
 def code_points(text: Column, length: int, modulus: int = 32_000) -> Column:
     """Code points modulo ``modulus`` of the first ``length`` characters, zero-padded."""
     text = F.coalesce(text, F.lit(""))
-    return F.transform(F.sequence(F.lit(1), F.lit(length)), lambda j: F.when(j <= F.length(text), F.ascii(F.substring(text, j, F.lit(1))) % modulus).otherwise(0).cast("long"))
+    return F.transform(
+        F.sequence(F.lit(1), F.lit(length)),
+        lambda j: F.when(
+            j <= F.length(text), F.ascii(F.substring(text, j, F.lit(1))) % modulus
+        ).otherwise(0).cast("long"),
+    )
 
 
 def attention_mask(text: Column, length: int) -> Column:
     """1 for each of the first ``length`` places that holds a character, else 0."""
-    return F.transform(F.sequence(F.lit(1), F.lit(length)), lambda j: (j <= F.length(F.coalesce(text, F.lit("")))).cast("long"))
+    return F.transform(
+        F.sequence(F.lit(1), F.lit(length)), lambda j: (j <= F.length(F.coalesce(text, F.lit("")))).cast("long")
+    )

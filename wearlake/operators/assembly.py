@@ -11,32 +11,49 @@ from wearlake.operators import series
 def missing_runs(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """(after_chunk, missing) of every hole in the chunk numbers."""
     after = F.lead(i).over(Window.partitionBy(part).orderBy(i))
-    return chunks.select(part, F.col(i).alias("after_chunk"), (after - F.col(i) - 1).alias("missing")).filter("missing > 0")
+    return chunks.select(
+        part, F.col(i).alias("after_chunk"), (after - F.col(i) - 1).alias("missing")
+    ).filter("missing > 0")
 
 
-def time_gaps(chunks: DataFrame, most: float = 5.0, length: float = 30.0, part: str = "session", i: str = "chunk") -> DataFrame:
+def time_gaps(
+    chunks: DataFrame, most: float = 5.0, length: float = 30.0, part: str = "session", i: str = "chunk"
+) -> DataFrame:
     """Chunks that start over ``most`` seconds after the one before ends; a missing end is start + ``length``; a chunk
     without a start is skipped."""
-    known = chunks.filter(F.col("start_time").isNotNull()).withColumn("_end", F.coalesce("end_time", F.col("start_time") + length))
+    known = chunks.filter(F.col("start_time").isNotNull()).withColumn(
+        "_end", F.coalesce("end_time", F.col("start_time") + length)
+    )
     gap = F.col("start_time") - F.lag("_end").over(Window.partitionBy(part).orderBy(i))
     return known.withColumn("gap", gap).filter(F.col("gap") > most).select(part, i, "gap")
 
 
-def coverage(chunks: DataFrame, length: float = 30.0, fps: float = 30.0, part: str = "session", i: str = "chunk") -> DataFrame:
+def coverage(
+    chunks: DataFrame, length: float = 30.0, fps: float = 30.0, part: str = "session", i: str = "chunk"
+) -> DataFrame:
     """Found and missing chunks between the first and last, percent, frames and seconds (from the times,
     else by number), and the holes."""
     n, span = F.countDistinct(i), F.max(i) - F.min(i) + 1
     seconds = F.coalesce(F.max("end_time") - F.min("start_time"), n * F.lit(length))
-    out = chunks.groupBy(part).agg(n.alias("found"), (span - n).alias("missing"), F.round(100 * n / span, 2).alias("percent"), seconds.alias("seconds"))
-    holes = missing_runs(chunks, part, i).groupBy(part).agg(F.array_sort(F.collect_list(F.struct("after_chunk", "missing"))).alias("gaps"))
+    out = chunks.groupBy(part).agg(
+        n.alias("found"), (span - n).alias("missing"), F.round(100 * n / span, 2).alias("percent"),
+        seconds.alias("seconds"),
+    )
+    holes = missing_runs(chunks, part, i).groupBy(part).agg(
+        F.array_sort(F.collect_list(F.struct("after_chunk", "missing"))).alias("gaps")
+    )
     empty = F.array().cast(holes.schema["gaps"].dataType)
-    return out.withColumn("frames", F.floor(F.col("seconds") * fps)).join(holes, part, "left").withColumn("gaps", F.coalesce("gaps", empty))
+    return out.withColumn(
+        "frames", F.floor(F.col("seconds") * fps)
+    ).join(holes, part, "left").withColumn("gaps", F.coalesce("gaps", empty))
 
 
 def absent_chunks(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """Chunk numbers expected between first and last but not there."""
     ends = chunks.groupBy(part).agg(F.min(i).alias("a"), F.max(i).alias("b"))
-    return ends.select(part, F.explode(series.numbers(F.col("a"), F.col("b"))).alias(i)).join(chunks.select(part, i), [part, i], "left_anti")
+    return ends.select(
+        part, F.explode(series.numbers(F.col("a"), F.col("b"))).alias(i)
+    ).join(chunks.select(part, i), [part, i], "left_anti")
 
 
 def common_chunks(left: DataFrame, right: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
@@ -54,10 +71,15 @@ def path_list(parts: list[DataFrame]) -> DataFrame:
 
 def video_manifest(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """(part, order, path) of the video files to join, in chunk order."""
-    return chunks.select(part, (F.row_number().over(Window.partitionBy(part).orderBy(i)) - 1).alias("order"), F.col("video").alias("path"))
+    return chunks.select(
+        part, (F.row_number().over(Window.partitionBy(part).orderBy(i)) - 1).alias("order"),
+        F.col("video").alias("path"),
+    )
 
 
-def series_of_chunks(rows: DataFrame, part: str = "session", t: str = "timestamp", order: tuple[str, ...] = ("chunk", "row")) -> DataFrame:
+def series_of_chunks(
+    rows: DataFrame, part: str = "session", t: str = "timestamp", order: tuple[str, ...] = ("chunk", "row")
+) -> DataFrame:
     """The rows of all chunks of a session, of one time only the first by chunk and row."""
     return series.first_by_time(rows, [part, t], list(order))
 
@@ -70,8 +92,13 @@ def assemble(chunks: DataFrame, length: float = 30.0, part: str = "session", i:
     """
     named = session_name(chunks.withColumn("_folder", F.col(part).cast("string")), "_folder", part, i)
     seconds = F.coalesce(F.max("end_time") - F.min("start_time"), F.countDistinct(i) * F.lit(length))
-    whole = chunks.groupBy(part).agg(F.countDistinct(i).alias("chunk_count"), F.array_sort(F.collect_set(i)).alias("chunk_indices"), seconds.alias("seconds"))
-    holes = missing_runs(chunks.select(part, i).distinct(), part, i).groupBy(part).agg(F.sum("missing").alias("missing"))
+    whole = chunks.groupBy(part).agg(
+        F.countDistinct(i).alias("chunk_count"), F.array_sort(F.collect_set(i)).alias("chunk_indices"),
+        seconds.alias("seconds"),
+    )
+    holes = missing_runs(
+        chunks.select(part, i).distinct(), part, i
+    ).groupBy(part).agg(F.sum("missing").alias("missing"))
     late = time_gaps(chunks, length=length, part=part, i=i).groupBy(part).agg(F.count("*").alias("late"))
     joined = whole.join(named, part).join(holes, part, "left").join(late, part, "left")
     return joined.withColumns({"missing": F.coalesce("missing", F.lit(0)), "late": F.coalesce("late", F.lit(0))})
@@ -89,9 +116,16 @@ def concat_audio(chunks: DataFrame, part: str = "session", i: str = "chunk") ->
     """One array of samples per session in chunk order, without chunks of another rate than the first, scaled to a peak of 1."""
     first = F.first("rate").over(Window.partitionBy(part).orderBy(i))
     same = chunks.withColumn("_r", first).filter(F.col("rate") == F.col("_r"))
-    joined = same.groupBy(part).agg(F.min("rate").alias("rate"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(i, "samples"))), lambda x: x["samples"])).alias("samples"))
+    joined = same.groupBy(part).agg(
+        F.min("rate").alias("rate"),
+        F.flatten(
+            F.transform(F.array_sort(F.collect_list(F.struct(i, "samples"))), lambda x: x["samples"])
+        ).alias("samples"),
+    )
     top = F.array_max(F.transform("samples", F.abs))
-    return joined.withColumn("samples", F.when(top > 0, F.transform("samples", lambda x: x / top)).otherwise(F.col("samples")))
+    return joined.withColumn(
+        "samples", F.when(top > 0, F.transform("samples", lambda x: x / top)).otherwise(F.col("samples"))
+    )
 
 
 def session_name(chunks: DataFrame, fallback: str, part: str = "folder", i: str = "chunk") -> DataFrame:

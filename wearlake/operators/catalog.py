@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from wearlake.functions import geo, vector
 
 
-def semantic_top_k(df: DataFrame, query: list[float], k: int, column: str = "embedding", key: str = "id", where: Column | None = None) -> DataFrame:
+def semantic_top_k(
+    df: DataFrame, query: list[float], k: int, column: str = "embedding", key: str = "id", where: Column | None = None
+) -> DataFrame:
     """The k rows of highest cosine to a query vector; ties by key, null vectors left out."""
     rows = df.filter(F.col(column).isNotNull())
     rows = rows.filter(where) if where is not None else rows
-    return rows.withColumn("similarity", vector.cosine(F.col(column), F.array(*(F.lit(float(x)) for x in query)))).orderBy(F.desc("similarity"), key).limit(k)
+    return rows.withColumn(
+        "similarity", vector.cosine(F.col(column), F.array(*(F.lit(float(x)) for x in query)))
+    ).orderBy(F.desc("similarity"), key).limit(k)
 
 
 def geo_radius(df: DataFrame, lat: float, lon: float, metres: float, key: str = "id") -> DataFrame:
@@ -23,10 +27,14 @@ def geo_radius(df: DataFrame, lat: float, lon: float, metres: float, key: str =
     near = df.filter(F.col("lat").between(lat - band, lat + band))
     if abs(lat) + band < 89:
         # the widest difference in longitude of a circle
-        side = math.degrees(math.asin(min(1.0, math.sin(min(metres / geo.EARTH_M, math.pi / 2)) / math.cos(math.radians(lat))))) * 1.001 + 1e-9
+        side = math.degrees(
+            math.asin(min(1.0, math.sin(min(metres / geo.EARTH_M, math.pi / 2)) / math.cos(math.radians(lat))))
+        ) * 1.001 + 1e-9
         if abs(lon) + side < 180 and metres / geo.EARTH_M < 1:
             near = near.filter(F.col("lon").between(lon - side, lon + side))
-    return near.withColumn("distance_m", geo.haversine(F.lit(lat), F.lit(lon), F.col("lat"), F.col("lon"))).filter(F.col("distance_m") <= metres).orderBy("distance_m", key)
+    return near.withColumn(
+        "distance_m", geo.haversine(F.lit(lat), F.lit(lon), F.col("lat"), F.col("lon"))
+    ).filter(F.col("distance_m") <= metres).orderBy("distance_m", key)
 
 
 def text_search(df: DataFrame, phrase: str, k: int, columns: list[str], key: str = "id") -> DataFrame:
@@ -43,7 +51,9 @@ def stats_by(df: DataFrame, column: str, session: str, seconds: str) -> DataFram
         F.grouping(column).cast("int").alias("is_total"), F.count("*").alias("episodes"), F.countDistinct(session).alias("sessions"),
         F.coalesce(F.sum(seconds), F.lit(0.0)).alias("seconds"),
     )
-    return rolled.filter((F.col("is_total") == 1) | F.col(column).isNotNull()).withColumn("hours", F.col("seconds") / 3600)
+    return rolled.filter(
+        (F.col("is_total") == 1) | F.col(column).isNotNull()
+    ).withColumn("hours", F.col("seconds") / 3600)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -68,15 +78,24 @@ def dataset_stats(episodes: DataFrame, fps: float = 30.0) -> DataFrame:
     """One row: episodes, frames, seconds, distinct non-empty sessions, distinct two-character language prefixes."""
     prefix = F.substring("instruction", 1, 2)
     return episodes.agg(
-        F.count("*").alias("episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.coalesce(F.sum(F.col("frames") / fps), F.lit(0.0)).alias("seconds"),
-        F.countDistinct(F.when(F.col("session") != "", F.col("session"))).alias("sessions"), F.array_join(F.array_sort(F.collect_set(F.when(prefix != "", prefix))), ",").alias("languages"),
+        F.count("*").alias("episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.coalesce(
+            F.sum(F.col("frames") / fps), F.lit(0.0)
+        ).alias("seconds"),
+        F.countDistinct(F.when(F.col("session") != "", F.col("session"))).alias("sessions"), F.array_join(
+            F.array_sort(F.collect_set(F.when(prefix != "", prefix))), ","
+        ).alias("languages"),
     )
 
 
 def session_summary(sessions: DataFrame) -> DataFrame:
     """Seconds rounded to 2 places (missing ends count as 0), the language or ?, and whether it has_video, has_audio
     and has_imu, false where the column is missing or null; a missing id is ?, missing video_frames 0."""
-    flags = {f: F.coalesce(F.col(f), F.lit(False)) if f in sessions.columns else F.lit(False) for f in ("has_video", "has_audio", "has_imu")}
+    flags = {
+        f: F.coalesce(F.col(f), F.lit(False))
+        if f in sessions.columns
+        else F.lit(False)
+        for f in ("has_video", "has_audio", "has_imu")
+    }
     seconds = F.bround(F.coalesce("end_time", F.lit(0.0)) - F.coalesce("start_time", F.lit(0.0)), 2)
     named = {"session_id": F.coalesce("session_id", F.lit("?")), "video_frames": F.coalesce("video_frames", F.lit(0))}
     named = {c: v for c, v in named.items() if c in sessions.columns}
@@ -94,14 +113,20 @@ def top_values(df: DataFrame, column: str, k: int = 3, part: str | None = None)
     n = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n"))
     if not part:
         return n.orderBy(F.desc("n"), column).limit(k)
-    return n.withColumn("_n", F.row_number().over(Window.partitionBy(part).orderBy(F.desc("n"), column))).filter(F.col("_n") <= k).drop("_n")
+    return n.withColumn(
+        "_n", F.row_number().over(Window.partitionBy(part).orderBy(F.desc("n"), column))
+    ).filter(F.col("_n") <= k).drop("_n")
 
 
 def gps_summary(fixes: DataFrame, part: str = "session", k: int = 3) -> DataFrame:
     """Points, largest ``total_m`` to one place, and the k most frequent places of each session as an array of (n, place_name)."""
-    top = top_values(fixes, "place_name", k, part).groupBy(part).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "place_name"))).alias("_t"))
+    top = top_values(fixes, "place_name", k, part).groupBy(part).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "place_name"))).alias("_t")
+    )
     places = F.transform("_t", lambda x: F.struct((-x["n"]).alias("n"), x["place_name"].alias("place_name")))
-    whole = fixes.groupBy(part).agg(F.count("*").alias("num_points"), F.bround(F.coalesce(F.max("total_m"), F.lit(0.0)), 1).alias("total_dist_m"))
+    whole = fixes.groupBy(part).agg(
+        F.count("*").alias("num_points"), F.bround(F.coalesce(F.max("total_m"), F.lit(0.0)), 1).alias("total_dist_m")
+    )
     return whole.join(top, part, "left").withColumn("top_places", places).drop("_t")
 
 
@@ -111,7 +136,9 @@ def tag_places(fixes: DataFrame, places: DataFrame | None = None, digits: int =
     if places is None:
         return fixes.withColumn("place_name", geo.tile_name(F.col("lat"), F.col("lon")))
     found = rounded.join(places.dropDuplicates(["lat_r", "lon_r"]), ["lat_r", "lon_r"], "left")
-    return found.withColumn("place_name", geo.place_name(F.col("place"), F.col("lat"), F.col("lon"))).drop("lat_r", "lon_r", "place")
+    return found.withColumn(
+        "place_name", geo.place_name(F.col("place"), F.col("lat"), F.col("lon"))
+    ).drop("lat_r", "lon_r", "place")
 
 
 def places_wanted(fixes: DataFrame, digits: int = 4) -> DataFrame:

@@ -13,25 +13,38 @@ MIN_FRAMES = 10
 
 def numbered(rows: DataFrame, order: list[str], name: str, part: str = "session", base: int = 0) -> DataFrame:
     """Adds ``name``: base, base + 1 and so on in the order of each series."""
-    return rows.withColumn(name, (F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1 + base).cast("long"))
+    return rows.withColumn(
+        name, (F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1 + base).cast("long")
+    )
 
 
 def instruction_map(texts: DataFrame, part: str = "session", order: str = "ord") -> DataFrame:
     """(part, segment, instruction) of rows with text and maybe segment_index, which is the row's place where it is
     missing; of several for one segment the last row's."""
     rows = numbered(texts, [order], "_place", part)
-    segment = F.coalesce(F.col("segment_index").cast("long"), F.col("_place")) if "segment_index" in texts.columns else F.col("_place")
-    return rows.groupBy(part, segment.alias("segment")).agg(F.max_by(F.coalesce("text", F.lit("")), "_place").alias("instruction"))
-
-
-def cut_episodes(segments: DataFrame, lengths: DataFrame, texts: DataFrame, default: str = "", least: int = MIN_FRAMES, base: int = 0, part: str = "session") -> DataFrame:
+    segment = F.coalesce(
+        F.col("segment_index").cast("long"), F.col("_place")
+    ) if "segment_index" in texts.columns else F.col("_place")
+    return rows.groupBy(part, segment.alias("segment")).agg(
+        F.max_by(F.coalesce("text", F.lit("")), "_place").alias("instruction")
+    )
+
+
+def cut_episodes(
+    segments: DataFrame, lengths: DataFrame, texts: DataFrame, default: str = "", least: int = MIN_FRAMES,
+    base: int = 0, part: str = "session",
+) -> DataFrame:
     """Episodes of a session's segments (segment, start_frame, end_frame): clamped to the session's ``n_frames``
     (``lengths``), without those under ``least`` frames, numbered from ``base`` in segment order, each with the
     instruction of its segment, which may be empty, else the default."""
     inside = segments.join(lengths.select(part, "n_frames"), part)
-    inside = inside.withColumns({"start_frame": F.greatest(F.col("start_frame"), F.lit(0)), "end_frame": F.least("end_frame", "n_frames")}).drop("n_frames")
+    inside = inside.withColumns(
+        {"start_frame": F.greatest(F.col("start_frame"), F.lit(0)), "end_frame": F.least("end_frame", "n_frames")}
+    ).drop("n_frames")
     kept = inside.filter(F.col("end_frame") - F.col("start_frame") >= least)
-    said = numbered(kept, ["segment"], "episode_index", part, base).join(instruction_map(texts, part), [part, "segment"], "left")
+    said = numbered(kept, ["segment"], "episode_index", part, base).join(
+        instruction_map(texts, part), [part, "segment"], "left"
+    )
     return said.withColumn("instruction", F.coalesce("instruction", F.lit(default)))
 
 
@@ -41,30 +54,59 @@ def episode_frames(episodes: DataFrame, frames: DataFrame, part: str = "session"
     return inside.withColumn("frame_index", F.col("frame") - F.col("start_frame")).drop("start_frame", "end_frame")
 
 
-def frame_payload(frames: DataFrame, imu: DataFrame | None = None, gps: DataFrame | None = None, audio: DataFrame | None = None, audio_width: int = 533, part: str = "session") -> DataFrame:
+def frame_payload(
+    frames: DataFrame, imu: DataFrame | None = None, gps: DataFrame | None = None, audio: DataFrame | None = None,
+    audio_width: int = 533, part: str = "session",
+) -> DataFrame:
     """imu (10 numbers), gps (6), audio (``audio_width``) and action (7) of each (part, frame).
 
     The others hold rows of (part, frame) with ``values``; what is missing is 0.  Inertial rows of a session count only
     if there are at least as many as frames.  The action is the six inertial values and 0.
     """
-    fit = lambda c, width: F.slice(F.concat(F.coalesce(F.transform(F.coalesce(c, F.array().cast("array<double>")), lambda x: F.coalesce(x.cast("double"), F.lit(0.0))), F.array().cast("array<double>")), F.array_repeat(F.lit(0.0), width)), 1, width)
+    fit = lambda c, width: F.slice(
+        F.concat(
+            F.coalesce(
+                F.transform(
+                    F.coalesce(c, F.array().cast("array<double>")), lambda x: F.coalesce(x.cast("double"), F.lit(0.0))
+                ),
+                F.array().cast("array<double>"),
+            ),
+            F.array_repeat(F.lit(0.0), width),
+        ),
+        1, width,
+    )
     out = frames
     if imu is not None:
-        enough = imu.groupBy(part).agg(F.count("*").alias("_have")).join(frames.groupBy(part).agg(F.count("*").alias("_want")), part).filter("_have >= _want").select(part)
+        enough = imu.groupBy(part).agg(F.count("*").alias("_have")).join(
+            frames.groupBy(part).agg(F.count("*").alias("_want")), part
+        ).filter("_have >= _want").select(part)
         imu = imu.join(enough, part, "left_semi")
     for name, rows in (("imu", imu), ("gps", gps), ("audio", audio)):
-        out = out.join(rows.select(part, "frame", F.col("values").alias(f"_{name}")), [part, "frame"], "left") if rows is not None else out.withColumn(f"_{name}", F.lit(None).cast("array<double>"))
-    out = out.withColumns({"imu": fit(F.slice("_imu", 1, 6), IMU_WIDTH), "gps": fit(F.col("_gps"), GPS_WIDTH), "audio": fit(F.col("_audio"), audio_width)})
+        out = out.join(
+            rows.select(part, "frame", F.col("values").alias(f"_{name}")), [part, "frame"], "left"
+        ) if rows is not None else out.withColumn(f"_{name}", F.lit(None).cast("array<double>"))
+    out = out.withColumns(
+        {
+            "imu": fit(F.slice("_imu", 1, 6), IMU_WIDTH), "gps": fit(F.col("_gps"), GPS_WIDTH),
+            "audio": fit(F.col("_audio"), audio_width),
+        }
+    )
     return out.withColumn("action", F.concat(F.slice("imu", 1, 6), F.array(F.lit(0.0)))).drop("_imu", "_gps", "_audio")
 
 
-def derive_actions(frames: DataFrame, width: int = IMU_WIDTH, part: str | tuple[str, ...] = "session", frame: str = "frame_index") -> DataFrame:
+def derive_actions(
+    frames: DataFrame, width: int = IMU_WIDTH, part: str | tuple[str, ...] = "session", frame: str = "frame_index"
+) -> DataFrame:
     """``action`` (7 numbers) of frames with ``imu``: with 10 columns no move and the change of the quaternion, whose
     first row is the identity less its own; with 6 the angular rates in the last three; else zeros."""
     zero = F.lit(0.0)
     if width >= IMU_WIDTH:
         before = F.lag("imu").over(Window.partitionBy(*([part] if isinstance(part, str) else part)).orderBy(frame))
-        turn = [F.when(before.isNotNull(), F.get("imu", F.lit(k)) - F.get(before, F.lit(k))).otherwise(F.lit(float(k == 9)) - F.get("imu", F.lit(k))) for k in range(6, 10)]
+        turn = [
+            F.when(
+                before.isNotNull(), F.get("imu", F.lit(k)) - F.get(before, F.lit(k))
+            ).otherwise(F.lit(float(k == 9)) - F.get("imu", F.lit(k))) for k in range(6, 10)
+        ]
         return frames.withColumn("action", F.array(zero, zero, zero, *turn))
     rates = [F.get("imu", F.lit(k)) for k in range(3, 6)] if width >= 6 else [zero] * 3
     return frames.withColumn("action", F.array(zero, zero, zero, zero, *rates))
@@ -103,14 +145,18 @@ def frame_index(episodes: DataFrame, key: str = "path") -> DataFrame:
 def key_frames(segments: DataFrame, most: int, part: str = "session") -> DataFrame:
     """The middle frame of each of the first ``most`` segments of a session, ascending."""
     first = numbered(segments, ["segment"], "_n", part).filter(F.col("_n") < most)
-    return first.select(part, "segment", F.floor((F.col("start_frame") + F.col("end_frame")) / 2).cast("long").alias("frame"))
+    return first.select(
+        part, "segment", F.floor((F.col("start_frame") + F.col("end_frame")) / 2).cast("long").alias("frame")
+    )
 
 
 def even_frames(lengths: DataFrame, most: int, part: str = "session") -> DataFrame:
     """Without segments: every max(1, n_frames // most)-th frame, the first ``most`` of them."""
     step = F.greatest(F.lit(1), F.floor(F.col("n_frames") / most))
     last = F.least(F.floor((F.col("n_frames") - 1) / step), F.lit(most - 1))
-    return lengths.select(part, F.explode(F.transform(series.numbers(F.lit(0), last), lambda k: (k * step).cast("long"))).alias("frame"))
+    return lengths.select(
+        part, F.explode(F.transform(series.numbers(F.lit(0), last), lambda k: (k * step).cast("long"))).alias("frame")
+    )
 
 
 def best_checkpoint(runs: DataFrame, part: str = "run", loss: str = "val_loss", order: str = "epoch") -> DataFrame:

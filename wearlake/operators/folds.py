@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 Step = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def carried(df: DataFrame, columns: list[str], names: list[str], width: int, step: Step, part: str, t: str, tie: str | None = None) -> DataFrame:
+def carried(
+    df: DataFrame, columns: list[str], names: list[str], width: int, step: Step, part: str, t: str,
+    tie: str | None = None,
+) -> DataFrame:
     """Adds ``names``, a fold over each series in time order.
 
     ``step(state, values, fresh)`` gets (n, width) states, (n, 1 + columns) times and values of one row of each of n
@@ -50,7 +53,10 @@ def carried(df: DataFrame, columns: list[str], names: list[str], width: int, ste
     return df.repartition(part).sortWithinPartitions(part, t, *([tie] if tie else [])).mapInPandas(run, kinds)
 
 
-def kalman(df: DataFrame, columns: list[str], part: str = "session", t: str = "t", start: float = 1e-4, drift: float = 1e-4, noise: float = 1e-2, tie: str | None = None) -> DataFrame:
+def kalman(
+    df: DataFrame, columns: list[str], part: str = "session", t: str = "t", start: float = 1e-4, drift: float = 1e-4,
+    noise: float = 1e-2, tie: str | None = None,
+) -> DataFrame:
     """Constant-velocity smoothing; the axes share one 2x2 covariance.  A step of no time counts as 1 s; one row stays."""
     m = len(columns)
 
@@ -69,7 +75,9 @@ def kalman(df: DataFrame, columns: list[str], part: str = "session", t: str = "t
         new = np.column_stack((time, ahead + g[:, None] * e, v + h[:, None] * e, (1 - g) * a, (1 - g) * b, c - h * b))
         if fresh.any():
             n = int(fresh.sum())
-            new[fresh] = np.column_stack((time[fresh], z[fresh], np.zeros((n, m)), np.full(n, start), np.zeros(n), np.full(n, start)))
+            new[fresh] = np.column_stack(
+                (time[fresh], z[fresh], np.zeros((n, m)), np.full(n, start), np.zeros(n), np.full(n, start))
+            )
         return new, new[:, 1 : 1 + m]
 
     return carried(df, columns, [f"{c}_smooth" for c in columns], 4 + 2 * m, step, part, t, tie)
@@ -79,7 +87,11 @@ def merge_short(df: DataFrame, least: int = 15, part: str = "session") -> DataFr
     """Segments shorter than ``least`` frames join their next neighbour, else the one before, until none changes."""
 
     def run(p: pd.DataFrame) -> pd.DataFrame:
-        rows = [tuple(r) for r in p.sort_values("start_frame")[["start_frame", "end_frame", "confidence", "motion_magnitude"]].itertuples(index=False)]
+        rows = [
+            tuple(r) for r in p.sort_values("start_frame")[
+                ["start_frame", "end_frame", "confidence", "motion_magnitude"]
+            ].itertuples(index=False)
+        ]
         size = lambda r: r[1] - r[0]
         join = lambda a, b: (a[0], b[1], max(a[2], b[2]), (a[3] * size(a) + b[3] * size(b)) / (size(a) + size(b)))
         again = True
@@ -97,10 +109,16 @@ def merge_short(df: DataFrame, least: int = 15, part: str = "session") -> DataFr
         out.insert(0, part, p[part].iloc[0])
         return out
 
-    return df.groupBy(part).applyInPandas(run, f"`{part}` {df.schema[part].dataType.simpleString()}, start_frame long, end_frame long, confidence double, motion_magnitude double")
+    return df.groupBy(part).applyInPandas(
+        run,
+        f"`{part}` {df.schema[part].dataType.simpleString()}, start_frame long, end_frame long, confidence double, motion_magnitude double",
+    )
 
 
-def orientation(df: DataFrame, gyro: tuple[str, str, str] = ("gx", "gy", "gz"), dt: float = 0.01, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
+def orientation(
+    df: DataFrame, gyro: tuple[str, str, str] = ("gx", "gy", "gz"), dt: float = 0.01, part: str = "session",
+    t: str = "t", tie: str | None = None,
+) -> DataFrame:
     """Quaternion (qx, qy, qz, qw) integrated from angular rates, from identity; tiny turns are skipped."""
 
     def step(state: np.ndarray, values: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +127,12 @@ def orientation(df: DataFrame, gyro: tuple[str, str, str] = ("gx", "gy", "gz"),
         turned = rate * dt > 1e-10
         s = np.sin(rate * dt / 2) / np.where(turned, rate, 1.0)
         a, b, c, d = values[:, 1] * s, values[:, 2] * s, values[:, 3] * s, np.cos(rate * dt / 2)
-        q = np.column_stack((w * a + x * d + y * c - z * b, w * b - x * c + y * d + z * a, w * c + x * b - y * a + z * d, w * d - x * a - y * b - z * c))
+        q = np.column_stack(
+            (
+                w * a + x * d + y * c - z * b, w * b - x * c + y * d + z * a, w * c + x * b - y * a + z * d,
+                w * d - x * a - y * b - z * c,
+            )
+        )
         q /= np.sqrt((q**2).sum(axis=1))[:, None]
         out = np.where(turned[:, None], q, np.column_stack((x, y, z, w)))
         return out, out
@@ -138,14 +161,21 @@ def high_pass(x: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:
     return once(once(wide)[::-1])[::-1][9:-9]
 
 
-def remove_gravity(df: DataFrame, columns: list[str], rate: float = 100.0, part: str = "session", t: str = "t") -> DataFrame:
+def remove_gravity(
+    df: DataFrame, columns: list[str], rate: float = 100.0, part: str = "session", t: str = "t"
+) -> DataFrame:
     def run(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(t, kind="stable").reset_index(drop=True)
         for c in columns:
             p[f"{c}_hp"] = high_pass(p[c].to_numpy(float), rate)
         return p
 
-    return df.groupBy(part).applyInPandas(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{c}_hp` double" for c in columns]))
+    return df.groupBy(part).applyInPandas(
+        run,
+        ", ".join(
+            [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{c}_hp` double" for c in columns]
+        ),
+    )
 
 
 def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:

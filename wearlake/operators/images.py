@@ -23,7 +23,9 @@ def block_features(frame: np.ndarray) -> np.ndarray:
     room = np.full((BLOCKS * high, BLOCKS * wide, x.shape[2]), np.nan)
     part = x[: BLOCKS * high, : BLOCKS * wide]
     room[: part.shape[0], : part.shape[1]] = part
-    cells = room.reshape(BLOCKS, high, BLOCKS, wide, -1).transpose(0, 2, 1, 3, 4).reshape(BLOCKS * BLOCKS, high * wide, -1)
+    cells = room.reshape(BLOCKS, high, BLOCKS, wide, -1).transpose(0, 2, 1, 3, 4).reshape(
+        BLOCKS * BLOCKS, high * wide, -1
+    )
     known = ~np.isnan(cells)
     n = np.maximum(known.sum(axis=1), 1)
     mean = np.where(known, cells, 0).sum(axis=1) / n
@@ -44,7 +46,9 @@ def embed_images(frames: DataFrame, key: list[str]) -> DataFrame:
             yield p[key].assign(embedding=pd.Series(made, index=p.index, dtype=object))
 
     kinds = ", ".join(f"`{k}` {frames.schema[k].dataType.simpleString()}" for k in key)
-    return frames.select(*key, "image", "height", "width", "channels").mapInPandas(run, f"{kinds}, embedding array<double>")
+    return frames.select(
+        *key, "image", "height", "width", "channels"
+    ).mapInPandas(run, f"{kinds}, embedding array<double>")
 
 
 def to_rgb(frames: DataFrame) -> DataFrame:
@@ -52,17 +56,27 @@ def to_rgb(frames: DataFrame) -> DataFrame:
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            made = [None if raw is None else (np.frombuffer(raw, np.uint8).reshape(-1, 3)[:, ::-1].ravel() / 255.0).astype(np.float32) for raw in p["image"]]
+            made = [
+                None
+                if raw is None
+                else (np.frombuffer(raw, np.uint8).reshape(-1, 3)[:, ::-1].ravel() / 255.0).astype(np.float32)
+                for raw in p["image"]
+            ]
             yield p.assign(pixels=pd.Series(made, index=p.index, dtype=object))
 
-    return frames.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema) + ", pixels array<float>")
+    return frames.mapInPandas(
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema) + ", pixels array<float>"
+    )
 
 
 def masked_mean(vectors: Column, mask: Column) -> Column:
     """The mean of the vectors of an array whose mask is 1; zeros if there is none."""
     pairs = F.arrays_zip(vectors.alias("v"), mask.alias("m"))
     kept = F.transform(F.filter(pairs, lambda p: p["m"] == 1), lambda p: p["v"])
-    total = F.aggregate(kept, F.transform(F.get(vectors, 0), lambda x: F.lit(0.0)), lambda s, v: F.zip_with(s, v, lambda a, b: a + b.cast("double")))
+    total = F.aggregate(
+        kept, F.transform(F.get(vectors, 0), lambda x: F.lit(0.0)),
+        lambda s, v: F.zip_with(s, v, lambda a, b: a + b.cast("double")),
+    )
     return F.transform(total, lambda x: x / F.greatest(F.size(kept), F.lit(1)))
 
 

@@ -19,8 +19,12 @@ def _order(part: str, t: str, tie: str | None = None):
 def numbers(first: Column, last: Column, most: int = MOST_NUMBERS) -> Column:
     """The whole numbers from ``first`` to ``last``, none if that is less; over ``most`` of them is an error, not an array."""
     a, b = first.cast("long"), last.cast("long")
-    wrong = F.raise_error(F.concat(F.lit("a range of numbers is too long: "), a.cast("string"), F.lit(" to "), b.cast("string"))).cast("array<bigint>")
-    return F.when(b < a, F.array().cast("array<bigint>")).when(b - a < most, F.sequence(a, F.greatest(a, b))).otherwise(wrong)
+    wrong = F.raise_error(
+        F.concat(F.lit("a range of numbers is too long: "), a.cast("string"), F.lit(" to "), b.cast("string"))
+    ).cast("array<bigint>")
+    return F.when(b < a, F.array().cast("array<bigint>")).when(
+        b - a < most, F.sequence(a, F.greatest(a, b))
+    ).otherwise(wrong)
 
 
 def motion(df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
@@ -33,35 +37,55 @@ def motion(df: DataFrame, part: str = "session", t: str = "t", tie: str | None =
     step = F.coalesce(geo.haversine(at("lat"), at("lon"), F.col("lat"), F.col("lon")), F.lit(0.0))
     head = geo.bearing(at("lat"), at("lon"), F.col("lat"), F.col("lon"))
     dt = F.greatest(F.col(t) - at(t), F.lit(1e-6))
-    out = df.withColumn("distance_m", step).withColumn("speed_kmh", F.coalesce(F.col("distance_m") / dt * 3.6, F.lit(0.0))).withColumn("_head", head)
+    out = df.withColumn("distance_m", step).withColumn(
+        "speed_kmh", F.coalesce(F.col("distance_m") / dt * 3.6, F.lit(0.0))
+    ).withColumn("_head", head)
     out = out.withColumn("heading", F.coalesce("_head", F.lead("_head").over(w), F.lit(0.0))).drop("_head")
     return out.withColumn("total_m", F.sum("distance_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
-def stationary(df: DataFrame, part: str = "session", t: str = "t", speed: str = "speed", below: float = 2.0, seconds: float = 5.0, tie: str | None = None) -> DataFrame:
+def stationary(
+    df: DataFrame, part: str = "session", t: str = "t", speed: str = "speed", below: float = 2.0, seconds: float = 5.0,
+    tie: str | None = None,
+) -> DataFrame:
     """is_stationary: rows of a run below the speed that lasts ``seconds``; segment_id grows at each start of moving."""
     w = _order(part, t, tie)
     slow = df.withColumn("_slow", F.col(speed) < below)
-    runs = slow.withColumn("_run", F.sum(F.when(F.col("_slow") != F.lag("_slow").over(w), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = slow.withColumn(
+        "_run",
+        F.sum(
+            F.when(F.col("_slow") != F.lag("_slow").over(w), 1).otherwise(0)
+        ).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+    )
     inside = Window.partitionBy(part, "_run")
-    marked = runs.withColumn("is_stationary", F.col("_slow") & (F.max(t).over(inside) - F.min(t).over(inside) >= seconds))
+    marked = runs.withColumn(
+        "is_stationary", F.col("_slow") & (F.max(t).over(inside) - F.min(t).over(inside) >= seconds)
+    )
     starts = F.when(F.lag("is_stationary").over(w) & ~F.col("is_stationary"), 1).otherwise(0)
-    return marked.withColumn("_starts", starts).withColumn("segment_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_slow", "_run", "_starts")
+    return marked.withColumn("_starts", starts).withColumn(
+        "segment_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ).drop("_slow", "_run", "_starts")
 
 
-def _neighbours(samples: DataFrame, grid: DataFrame, columns: list[str], part: str, t: str, block: float, tie: str | None) -> DataFrame:
+def _neighbours(
+    samples: DataFrame, grid: DataFrame, columns: list[str], part: str, t: str, block: float, tie: str | None
+) -> DataFrame:
     """(part, t, _p, _n): for each grid time the last sample at or before it and the first after it, null where there is none.
 
     A series is cut into blocks of ``block`` seconds, so that a long one isn't one task; each block has the nearest
     samples outside it from a window over one row a block.
     """
     value = F.struct(F.col(t).alias("t"), *([F.col(tie).alias("tie")] if tie else []), *columns)
-    rows = samples.select(part, t, F.lit(0).alias("_grid"), value.alias("_s")).unionByName(grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True)
+    rows = samples.select(part, t, F.lit(0).alias("_grid"), value.alias("_s")).unionByName(
+        grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True
+    )
     rows = rows.withColumn("_block", F.floor(F.col(t) / block))
     w = Window.partitionBy(part, "_block")
     whole = (Window.unboundedPreceding, 0)
     both = rows.withColumn("_p", F.last("_s", True).over(w.orderBy(t, "_grid", "_s").rowsBetween(*whole)))
-    both = both.withColumn("_n", F.last("_s", True).over(w.orderBy(F.desc(t), F.desc("_grid"), F.desc("_s")).rowsBetween(*whole))).filter("_grid = 1")
+    both = both.withColumn(
+        "_n", F.last("_s", True).over(w.orderBy(F.desc(t), F.desc("_grid"), F.desc("_s")).rowsBetween(*whole))
+    ).filter("_grid = 1")
     by = Window.partitionBy(part)
     ends = rows.groupBy(part, "_block").agg(F.max("_s").alias("_high"), F.min("_s").alias("_low"))
     earlier = F.last("_high", True).over(by.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
@@ -71,19 +95,27 @@ def _neighbours(samples: DataFrame, grid: DataFrame, columns: list[str], part: s
     return joined.select(part, t, F.coalesce("_p", "_earlier").alias("_p"), F.coalesce("_n", "_later").alias("_n"))
 
 
-def interpolate(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t", block: float = 86_400.0, tie: str | None = None) -> DataFrame:
+def interpolate(
+    samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t",
+    block: float = 86_400.0, tie: str | None = None,
+) -> DataFrame:
     """Linear interpolation of samples at grid times, held at the first and last sample outside; of samples of one time the last by ``tie`` counts."""
     both = _neighbours(samples, grid, columns, part, t, block, tie)
     share = (F.col(t) - F.col("_p.t")) / (F.col("_n.t") - F.col("_p.t"))
 
     def at(c: str) -> Column:
         p, n = F.col(f"_p.{c}"), F.col(f"_n.{c}")
-        return F.when(F.col("_p").isNull(), n).when(F.col("_n").isNull() | (F.col("_p.t") == F.col(t)), p).otherwise(p + (n - p) * share)
+        return F.when(F.col("_p").isNull(), n).when(
+            F.col("_n").isNull() | (F.col("_p.t") == F.col(t)), p
+        ).otherwise(p + (n - p) * share)
 
     return both.select(part, t, *(at(c).alias(c) for c in columns))
 
 
-def as_of(samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t", block: float = 86_400.0, tie: str | None = None) -> DataFrame:
+def as_of(
+    samples: DataFrame, grid: DataFrame, columns: list[str], part: str = "session", t: str = "t",
+    block: float = 86_400.0, tie: str | None = None,
+) -> DataFrame:
     """The latest sample at or before each grid time; before the first, the first."""
     both = _neighbours(samples, grid, columns, part, t, block, tie)
     return both.withColumn("_v", F.coalesce("_p", "_n")).select(part, t, *(F.col(f"_v.{c}").alias(c) for c in columns))
@@ -93,12 +125,16 @@ def grid(df: DataFrame, step: float, part: str = "session", t: str = "t", closed
     """Times from the first sample every ``step``; closed: until the last one is reached or passed, else before it."""
     ends = df.groupBy(part).agg(F.min(t).alias("_a"), F.max(t).alias("_b"))
     n = F.ceil((F.col("_b") - F.col("_a")) / step).cast("long") + (1 if closed else 0)
-    return ends.withColumn("_k", F.explode(numbers(F.lit(0), n - 1))).select(part, (F.col("_a") + F.col("_k") * step).alias(t))
+    return ends.withColumn("_k", F.explode(numbers(F.lit(0), n - 1))).select(
+        part, (F.col("_a") + F.col("_k") * step).alias(t)
+    )
 
 
 def first_by_time(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the first row of each key."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    return df.withColumn(
+        "_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ).filter("_n = 1").drop("_n")
 
 
 def z_score(df: DataFrame, columns: list[str], part: str = "session", least: float = 1e-8) -> DataFrame:
@@ -106,11 +142,16 @@ def z_score(df: DataFrame, columns: list[str], part: str = "session", least: flo
     w = Window.partitionBy(part)
     for c in columns:
         dev = F.stddev_samp(c).over(w)
-        df = df.withColumn(f"{c}_z", (F.col(c) - F.avg(c).over(w)) / F.when(dev < least, F.lit(1.0)).otherwise(F.coalesce(dev, F.lit(1.0))))
+        df = df.withColumn(
+            f"{c}_z",
+            (F.col(c) - F.avg(c).over(w)) / F.when(dev < least, F.lit(1.0)).otherwise(F.coalesce(dev, F.lit(1.0))),
+        )
     return df
 
 
-def min_max(df: DataFrame, column: str, low: float, high: float, part: str = "session", floor: float = 1e-9) -> DataFrame:
+def min_max(
+    df: DataFrame, column: str, low: float, high: float, part: str = "session", floor: float = 1e-9
+) -> DataFrame:
     """Scaled to [low, high] over the series."""
     w = Window.partitionBy(part)
     a, b = F.min(column).over(w), F.max(column).over(w)
@@ -135,36 +176,59 @@ def geo_embedding(df: DataFrame, part: str = "session", fastest: float = 120.0)
         df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in df.columns else F.lit(0.0))
     for c, low in (("lat", -1.0), ("lon", -1.0), ("alt", 0.0)):
         df = min_max(df, c, low, 1.0, part)
-    return df.withColumn("embedding", F.array("lat_n", "lon_n", "alt_n", geo.speed_share(F.col("speed_kmh"), fastest), *geo.cyclic(F.col("heading")))).drop("lat_n", "lon_n", "alt_n")
+    return df.withColumn(
+        "embedding",
+        F.array("lat_n", "lon_n", "alt_n", geo.speed_share(F.col("speed_kmh"), fastest), *geo.cyclic(F.col("heading"))),
+    ).drop("lat_n", "lon_n", "alt_n")
 
 
-def hysteresis(df: DataFrame, part: str = "session", i: str = "frame", m: str = "magnitude", high: float = 3.0, low: float = 1.0) -> DataFrame:
+def hysteresis(
+    df: DataFrame, part: str = "session", i: str = "frame", m: str = "magnitude", high: float = 3.0, low: float = 1.0
+) -> DataFrame:
     """Action segments: from above ``high`` to the first below ``low``.  The mean includes the closing frame; a series
     without any is one segment of confidence 0.5.  Needs low <= high."""
     if low > high:
         raise ValueError("low must not exceed high")
     w = _order(part, i)
-    on = F.coalesce(F.last(F.when(F.col(m) > high, 1).when(F.col(m) < low, 0), True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    on = F.coalesce(
+        F.last(
+            F.when(F.col(m) > high, 1).when(F.col(m) < low, 0), True
+        ).over(w.rowsBetween(Window.unboundedPreceding, 0)),
+        F.lit(0),
+    )
     s = df.withColumn("_on", on).withColumn("_n", F.max(i).over(Window.partitionBy(part)) + 1)
     s = s.withColumn("_in", (F.col("_on") == 1) | (F.coalesce(F.lag("_on").over(w), F.lit(0)) == 1))
     starts = F.when((F.col("_on") == 1) & (F.coalesce(F.lag("_on").over(w), F.lit(0)) == 0), 1).otherwise(0)
     s = s.withColumn("_k", F.sum(starts).over(w))
-    found = s.filter("_in").groupBy(part, "_k").agg(F.min(i).alias("start_frame"), F.max(F.when(F.col("_on") == 1, F.col(i))).alias("_last"), F.avg(m).alias("motion_magnitude"))
-    found = found.select(part, "start_frame", (F.col("_last") + 1).alias("end_frame"), F.least(F.lit(1.0), F.col("motion_magnitude") / (2 * high)).alias("confidence"), "motion_magnitude")
-    whole = df.groupBy(part).agg(F.lit(0).cast("long").alias("start_frame"), (F.max(i) + 1).alias("end_frame"), F.lit(0.5).alias("confidence"), F.avg(m).alias("motion_magnitude"))
+    found = s.filter("_in").groupBy(part, "_k").agg(
+        F.min(i).alias("start_frame"), F.max(F.when(F.col("_on") == 1, F.col(i))).alias("_last"),
+        F.avg(m).alias("motion_magnitude"),
+    )
+    found = found.select(
+        part, "start_frame", (F.col("_last") + 1).alias("end_frame"),
+        F.least(F.lit(1.0), F.col("motion_magnitude") / (2 * high)).alias("confidence"), "motion_magnitude",
+    )
+    whole = df.groupBy(part).agg(
+        F.lit(0).cast("long").alias("start_frame"), (F.max(i) + 1).alias("end_frame"), F.lit(0.5).alias("confidence"),
+        F.avg(m).alias("motion_magnitude"),
+    )
     return found.unionByName(whole.join(found.select(part).distinct(), part, "left_anti"))
 
 
 def uniform(df: DataFrame, frames: int, part: str = "session", i: str = "frame", m: str = "magnitude") -> DataFrame:
     """Tumbling segments of ``frames`` frames, the last one short."""
     k = F.floor(F.col(i) / frames)
-    return df.groupBy(part, k.alias("segment")).agg(F.min(i).alias("start_frame"), (F.max(i) + 1).alias("end_frame"), F.avg(m).alias("motion_magnitude"))
+    return df.groupBy(part, k.alias("segment")).agg(
+        F.min(i).alias("start_frame"), (F.max(i) + 1).alias("end_frame"), F.avg(m).alias("motion_magnitude")
+    )
 
 
 def deltas(df: DataFrame, columns: list[str], first: list[float], part: str = "session", t: str = "t") -> DataFrame:
     """Differences from the row before; the first row from given values."""
     w = _order(part, t)
-    return df.select("*", *((F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(f))).alias(f"d_{c}") for c, f in zip(columns, first)))
+    return df.select(
+        "*", *((F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(f))).alias(f"d_{c}") for c, f in zip(columns, first))
+    )
 
 
 def train_share(df: DataFrame, order: list[str], share: float = 0.8, ranges: int = 64, sample: int = 2048) -> DataFrame:
@@ -187,7 +251,9 @@ def train_share(df: DataFrame, order: list[str], share: float = 0.8, ranges: int
     left, first = max(1, int(sum(n.values()) * share)), {}
     for r in sorted(n):
         first[r], left = min(n[r], left), left - min(n[r], left)
-    of = F.create_map(*(F.lit(x) for r, k in first.items() for x in (r, k))) if first else F.create_map(F.lit(0), F.lit(0))
+    of = F.create_map(
+        *(F.lit(x) for r, k in first.items() for x in (r, k))
+    ) if first else F.create_map(F.lit(0), F.lit(0))
     k = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return ranged.withColumn("split", F.when(k <= of[F.col("_range")], "train").otherwise("val")).drop("_range")
 
@@ -201,4 +267,6 @@ def first_rows(df: DataFrame, order: list[str], k: int, part: str | None = None)
     """The first k rows in an order, of all or of each series."""
     if part is None:
         return df.orderBy(*order).limit(k)
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(part).orderBy(*order))).filter(F.col("_n") <= k).drop("_n")
+    return df.withColumn(
+        "_n", F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    ).filter(F.col("_n") <= k).drop("_n")

@@ -43,6 +43,8 @@ def embed_term_counts(docs: DataFrame, key: str = "doc_id", column: str = "text"
                 part = batch.slice(start, _TEXTS)
                 n = np.array([counts(t) for t in part.column(1).to_pylist()])
                 row, slot = np.nonzero(n)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(slot), pa.array(n[row, slot])], [key, "slot", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(slot), pa.array(n[row, slot])], [key, "slot", "n"]
+                )
 
     return docs.select(key, column).mapInArrow(run, f"`{key}` {kind}, slot long, n long")

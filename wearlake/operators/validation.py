@@ -25,14 +25,27 @@ def errors(episodes: DataFrame) -> DataFrame:
     for side in ("height", "width"):
         checks.append(error(~F.col(side).between(MIN_SIDE, MAX_SIDE), side, F.col(side).cast("string")))
     for m in ("audio", "imu", "action"):
-        checks.append(error(F.col(f"{m}_rows") != F.col("frames"), "alignment", F.concat(F.lit(f"{m}:"), F.col(f"{m}_rows").cast("string"))))
+        checks.append(
+            error(
+                F.col(f"{m}_rows") != F.col("frames"), "alignment",
+                F.concat(F.lit(f"{m}:"), F.col(f"{m}_rows").cast("string")),
+            )
+        )
     checks.append(error(F.trim(F.coalesce("instruction", F.lit(""))) == "", "instruction", F.lit("empty")))
-    checks.append(error(F.exists(values, lambda v: ~F.isnan(v) & (F.abs(v) > ACTION_MOST) & (F.abs(v) != float("inf"))), "action_range", F.lit("over limit")))
+    checks.append(
+        error(
+            F.exists(values, lambda v: ~F.isnan(v) & (F.abs(v) > ACTION_MOST) & (F.abs(v) != float("inf"))),
+            "action_range", F.lit("over limit"),
+        )
+    )
     checks.append(error(_bad(values), "nan", F.lit("action")))
     checks.append(error(F.exists(values, lambda v: F.abs(v) == float("inf")), "inf", F.lit("action")))
     found = F.array_compact(F.array(*checks))
     if "open_error" in episodes.columns:
-        found = F.when(F.col("open_error").isNotNull(), F.array(F.struct(F.lit("open_file").alias("check"), F.col("open_error").alias("detail")))).otherwise(found)
+        found = F.when(
+            F.col("open_error").isNotNull(),
+            F.array(F.struct(F.lit("open_file").alias("check"), F.col("open_error").alias("detail"))),
+        ).otherwise(found)
     return episodes.withColumn("errors", found)
 
 
@@ -44,11 +57,16 @@ def validate(episodes: DataFrame) -> DataFrame:
 def report(episodes: DataFrame) -> DataFrame:
     """total, valid and invalid episodes, and the number of errors, in one pass."""
     n = F.size("errors")
-    return errors(episodes).agg(F.count("*").alias("total"), F.count_if(n == 0).alias("valid"), F.count_if(n > 0).alias("invalid"), F.coalesce(F.sum(n), F.lit(0)).alias("errors"))
+    return errors(episodes).agg(
+        F.count("*").alias("total"), F.count_if(n == 0).alias("valid"), F.count_if(n > 0).alias("invalid"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("errors"),
+    )
 
 
 def episode_files(files: DataFrame) -> DataFrame:
     """Of (session, path): a session's episodes/episode_*.h5 files, of a session without any all its .h5 files."""
-    named = files.filter(F.col("path").rlike(r"\.h5$")).withColumn("_named", F.col("path").rlike(r"/episodes/episode_[^/]*\.h5$"))
+    named = files.filter(F.col("path").rlike(r"\.h5$")).withColumn(
+        "_named", F.col("path").rlike(r"/episodes/episode_[^/]*\.h5$")
+    )
     any_ = named.groupBy("session").agg(F.max("_named").alias("_any"))
     return named.join(any_, "session").filter(F.col("_named") == F.col("_any")).drop("_named", "_any")

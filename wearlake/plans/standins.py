@@ -18,8 +18,14 @@ def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
     n = F.col("event_id")
     return e.select(
-        F.col("user_id").alias("session"), n, (F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)") / 1e6).alias("t"), "value",
-        (F.lit(12.9) + (n % 1000) * 1e-4).alias("lat"), (F.lit(77.5) + (n * 7 % 1000) * 1e-4).alias("lon"), (n % 7).cast("double").alias("speed"), ((n % 9) / 2.0).alias("magnitude"), F.col("event_type").alias("kind"),
+        F.col("user_id").alias("session"), n, (
+            F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)") / 1e6
+        ).alias("t"), "value",
+        (F.lit(12.9) + (n % 1000) * 1e-4).alias("lat"), (
+            F.lit(77.5) + (n * 7 % 1000) * 1e-4
+        ).alias("lon"), (n % 7).cast("double").alias("speed"), (
+            (n % 9) / 2.0
+        ).alias("magnitude"), F.col("event_type").alias("kind"),
     )
 
 
@@ -38,7 +44,10 @@ FRAMES = SENSOR + ", f AS (SELECT *, row_number() OVER (PARTITION BY session ORD
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as spoken intervals of 2.5 s, every 2 s."""
     c = read(spark, sf_dir, "conversations")
-    return c.select(F.col("conv_id").alias("session"), F.col("turn").alias("ord"), (F.col("turn") * 2.0).alias("r_start"), (F.col("turn") * 2.0 + 2.5).alias("r_end"), "text")
+    return c.select(
+        F.col("conv_id").alias("session"), F.col("turn").alias("ord"), (F.col("turn") * 2.0).alias("r_start"),
+        (F.col("turn") * 2.0 + 2.5).alias("r_end"), "text",
+    )
 
 
 TRANSCRIPTS = "r AS (SELECT conv_id AS session, turn AS ord, turn * 2e0 AS r_start, turn * 2e0 + 2.5e0 AS r_end, text FROM conversations)"
@@ -47,7 +56,9 @@ TRANSCRIPTS = "r AS (SELECT conv_id AS session, turn AS ord, turn * 2e0 AS r_sta
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of 3.2 s per conversation, up to the end of its last turn."""
     c = transcripts(spark, sf_dir).groupBy("session").agg(F.max("r_end").alias("end"))
-    return c.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("end") / 3.2) - 1))).select("session", "segment", (F.col("segment") * 3.2).alias("l_start"), (F.col("segment") * 3.2 + 3.2).alias("l_end"))
+    return c.withColumn("segment", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("end") / 3.2) - 1))).select(
+        "session", "segment", (F.col("segment") * 3.2).alias("l_start"), (F.col("segment") * 3.2 + 3.2).alias("l_end")
+    )
 
 
 SPANS = """l AS (SELECT session, segment, segment * 3.2e0 AS l_start, segment * 3.2e0 + 3.2e0 AS l_end
@@ -58,8 +69,12 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
-        k.alias("id"), F.col("o_custkey").alias("session"), (k % 400 + 3).alias("frames"), F.col("o_orderpriority").alias("scenario"), F.col("o_orderstatus").alias("status"),
-        (F.lit(12.0) + (k % 2000) * 1e-3).alias("lat"), (F.lit(77.0) + (k * 3 % 2000) * 1e-3).alias("lon"), F.col("o_totalprice").alias("price"),
+        k.alias("id"), F.col("o_custkey").alias("session"), (k % 400 + 3).alias("frames"), F.col(
+            "o_orderpriority"
+        ).alias("scenario"), F.col("o_orderstatus").alias("status"),
+        (F.lit(12.0) + (k % 2000) * 1e-3).alias("lat"), (
+            F.lit(77.0) + (k * 3 % 2000) * 1e-3
+        ).alias("lon"), F.col("o_totalprice").alias("price"),
     )
 
 

@@ -26,7 +26,10 @@ m AS (SELECT *, sum(started) OVER (PARTITION BY session ORDER BY t) AS segment_i
 def gps_stationary_segments(spark, d):
     rows = series.stationary(st.sensor(spark, d), tie="event_id")
     out = rows.groupBy("session", F.col("segment_id").cast("long").alias("segment_id"), "is_stationary")
-    return out.agg(F.count("*").alias("n"), F.round(F.min("t"), 6).alias("t_first"), F.round(F.max("t"), 6).alias("t_last"), F.round(F.avg("value"), 6).alias("mean_value"))
+    return out.agg(
+        F.count("*").alias("n"), F.round(F.min("t"), 6).alias("t_first"), F.round(F.max("t"), 6).alias("t_last"),
+        F.round(F.avg("value"), 6).alias("mean_value"),
+    )
 
 
 HAV = """CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL AND {d} IS NOT NULL THEN
@@ -42,7 +45,9 @@ motion AS (SELECT *, coalesce(distance_m / greatest(t - pt, 1e-6) * 3.6, 0) AS s
 
 @query(f"""WITH {st.SENSOR}, {MOTION} SELECT session, event_id, round(distance_m, 6) AS distance_m, round(speed_kmh, 6) AS speed_kmh, round(heading, 6) AS heading, round(total_m, 4) AS total_m FROM motion""")
 def gps_motion(spark, d):
-    return series.motion(st.sensor(spark, d), tie="event_id").select("session", "event_id", *r6("distance_m", "speed_kmh", "heading"), F.round("total_m", 4).alias("total_m"))
+    return series.motion(st.sensor(spark, d), tie="event_id").select(
+        "session", "event_id", *r6("distance_m", "speed_kmh", "heading"), F.round("total_m", 4).alias("total_m")
+    )
 
 
 _GRID = f"""WITH {st.SENSOR}, ends AS (SELECT session, min(t) AS a, max(t) AS b FROM s GROUP BY session),
@@ -68,14 +73,18 @@ def asof_ffill(spark, d):
  WHERE least(l_end, r_end) - greatest(l_start, r_start) > 0.1)
 SELECT l.session, l.segment, coalesce(string_agg(o.text, ' ' ORDER BY o.ord), '') AS text FROM l LEFT JOIN o USING (session, segment) GROUP BY ALL""")
 def overlap_text(spark, d):
-    return intervals.overlap_text(st.spans(spark, d), st.transcripts(spark, d), ["session", "segment"], 5.0).select("session", "segment", "text")
+    return intervals.overlap_text(
+        st.spans(spark, d), st.transcripts(spark, d), ["session", "segment"], 5.0
+    ).select("session", "segment", "text")
 
 
 @query(f"""WITH {st.TRANSCRIPTS}, {st.SPANS}, o AS (SELECT l.session, l.segment, trim(r.text) AS text, row_number() OVER (PARTITION BY l.session, l.segment ORDER BY least(l_end, r_end) - greatest(l_start, r_start) DESC, r.ord) AS n
  FROM l JOIN r USING (session) WHERE least(l_end, r_end) - greatest(l_start, r_start) > 0)
 SELECT l.session, l.segment, coalesce(nullif(o.text, ''), 'record egocentric task') AS text FROM l LEFT JOIN o ON l.session = o.session AND l.segment = o.segment AND o.n = 1""")
 def overlap_best(spark, d):
-    return intervals.best_overlap(st.spans(spark, d), st.transcripts(spark, d), ["session", "segment"], 5.0, "record egocentric task").select("session", "segment", "text")
+    return intervals.best_overlap(
+        st.spans(spark, d), st.transcripts(spark, d), ["session", "segment"], 5.0, "record egocentric task"
+    ).select("session", "segment", "text")
 
 
 @query(f"""WITH {st.FRAMES}, u AS (SELECT session, frame // 15 AS segment, min(frame) AS a, max(frame) + 1 AS b FROM f GROUP BY ALL)
@@ -83,12 +92,16 @@ SELECT u.session, u.segment, count(*) AS frames, round(avg(f.value), 6) AS mean_
 def frame_band_join(spark, d):
     f = st.frames(spark, d)
     segments = series.uniform(f, 15).drop("motion_magnitude")
-    return intervals.frames_in(segments, f).groupBy("session", "segment").agg(F.count("*").alias("frames"), F.round(F.avg("value"), 6).alias("mean_value"))
+    return intervals.frames_in(segments, f).groupBy("session", "segment").agg(
+        F.count("*").alias("frames"), F.round(F.avg("value"), 6).alias("mean_value")
+    )
 
 
 @query(f"""WITH {st.FRAMES} SELECT session, frame // 30 AS segment, min(frame) AS start_frame, max(frame) + 1 AS end_frame, round(avg(magnitude), 6) AS motion_magnitude FROM f GROUP BY ALL""")
 def uniform_segments(spark, d):
-    return series.uniform(st.frames(spark, d), 30).select("session", "segment", "start_frame", "end_frame", *r6("motion_magnitude"))
+    return series.uniform(st.frames(spark, d), 30).select(
+        "session", "segment", "start_frame", "end_frame", *r6("motion_magnitude")
+    )
 
 
 _HYST = f"""WITH {st.FRAMES}, a AS (SELECT *, CASE WHEN magnitude > 3 THEN 1 WHEN magnitude < 1 THEN 0 END AS sig FROM f),
@@ -101,7 +114,9 @@ x AS (SELECT session, min(frame) AS start_frame, max(CASE WHEN on_ = 1 THEN fram
 @query(_HYST + """ SELECT session, start_frame, end_frame, round(least(1, m / 6), 6) AS confidence, round(m, 6) AS motion_magnitude FROM x
 UNION ALL SELECT session, 0, max(frame) + 1, 0.5, round(avg(magnitude), 6) FROM f WHERE session NOT IN (SELECT session FROM x) GROUP BY session""")
 def hysteresis_segments(spark, d):
-    return series.hysteresis(st.frames(spark, d)).select("session", "start_frame", "end_frame", *r6("confidence", "motion_magnitude"))
+    return series.hysteresis(st.frames(spark, d)).select(
+        "session", "start_frame", "end_frame", *r6("confidence", "motion_magnitude")
+    )
 
 
 @query(f"WITH {st.CHUNKS}, n AS (SELECT *, lead(chunk) OVER (PARTITION BY session ORDER BY chunk) - chunk - 1 AS missing FROM c) SELECT session, chunk AS after_chunk, missing FROM n WHERE missing > 0")
@@ -118,7 +133,12 @@ def temporal_gaps(spark, d):
  round(max(end_time) - min(start_time), 6) AS seconds, floor((max(end_time) - min(start_time)) * 30)::BIGINT AS frames,
  coalesce(string_agg(chunk || '+' || missing, ',' ORDER BY chunk) FILTER (WHERE missing > 0), '') AS gaps FROM n GROUP BY session""")
 def coverage_stats(spark, d):
-    return assembly.coverage(st.chunks(spark, d)).select("session", "found", "missing", "percent", *r6("seconds"), "frames", F.array_join(F.transform("gaps", lambda g: F.concat_ws("+", g["after_chunk"], g["missing"])), ",").alias("gaps"))
+    return assembly.coverage(st.chunks(spark, d)).select(
+        "session", "found", "missing", "percent", *r6("seconds"), "frames",
+        F.array_join(
+            F.transform("gaps", lambda g: F.concat_ws("+", g["after_chunk"], g["missing"])), ","
+        ).alias("gaps"),
+    )
 
 
 @query(f"""WITH {st.CHUNKS}, x AS (SELECT session, unnest(range(min(chunk), max(chunk) + 1)) AS chunk FROM c GROUP BY session) SELECT session, count(*) AS absent FROM x ANTI JOIN c USING (session, chunk) GROUP BY session""")
@@ -129,7 +149,9 @@ def missing_chunk_ids(spark, d):
 @query(f"""WITH {st.SENSOR} SELECT session, event_id, round(t, 6) AS t, kind FROM (SELECT *, row_number() OVER (PARTITION BY session, floor(t / 60) ORDER BY t, event_id) AS n FROM s) WHERE n = 1""")
 def dedup_keep_first(spark, d):
     s = st.sensor(spark, d).withColumn("minute", F.floor(F.col("t") / 60))
-    return series.first_by_time(s, ["session", "minute"], ["t", "event_id"]).select("session", "event_id", *r6("t"), "kind")
+    return series.first_by_time(
+        s, ["session", "minute"], ["t", "event_id"]
+    ).select("session", "event_id", *r6("t"), "kind")
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, event_id, round((value - avg(value) OVER w) / CASE WHEN stddev_samp(value) OVER w < 1e-8 THEN 1 ELSE coalesce(stddev_samp(value) OVER w, 1) END, 6) AS value_z FROM s WINDOW w AS (PARTITION BY session)""")
@@ -141,9 +163,13 @@ def zscore_normalize(spark, d):
  round((event_id % 500 - min(event_id % 500) OVER w) / greatest(max(event_id % 500) OVER w - min(event_id % 500) OVER w, 1e-9), 6) AS alt_n, round(greatest(0, least(1, (event_id % 160) / 120e0)), 6) AS speed_n,
  round(sin(radians(speed * 40)), 6) AS heading_sin, round(cos(radians(speed * 40)), 6) AS heading_cos FROM s WINDOW w AS (PARTITION BY session)""")
 def geo_embedding(spark, d):
-    s = st.sensor(spark, d).withColumns({"alt": F.col("event_id") % 500, "speed_kmh": F.col("event_id") % 160, "heading": F.col("speed") * 40})
+    s = st.sensor(spark, d).withColumns(
+        {"alt": F.col("event_id") % 500, "speed_kmh": F.col("event_id") % 160, "heading": F.col("speed") * 40}
+    )
     names = ("lat_n", "lon_n", "alt_n", "speed_n", "heading_sin", "heading_cos")
-    return series.geo_embedding(s).select("session", "event_id", *(F.round(F.get("embedding", F.lit(k)), 6).alias(n) for k, n in enumerate(names)))
+    return series.geo_embedding(s).select(
+        "session", "event_id", *(F.round(F.get("embedding", F.lit(k)), 6).alias(n) for k, n in enumerate(names))
+    )
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, event_id, round(CASE WHEN max(abs(value)) OVER w < 1e-8 THEN value ELSE value / max(abs(value)) OVER w END, 6) AS value_p FROM s WINDOW w AS (PARTITION BY session)""")
@@ -158,7 +184,9 @@ def median_gap(spark, d):
 
 @query(f"""WITH {st.SENSOR} SELECT session, event_id, round(value - coalesce(lag(value) OVER w, 0), 6) AS d_value, round(speed - coalesce(lag(speed) OVER w, 1), 6) AS d_speed FROM s WINDOW w AS (PARTITION BY session ORDER BY t)""")
 def quat_delta(spark, d):
-    return series.deltas(st.sensor(spark, d), ["value", "speed"], [0.0, 1.0]).select("session", "event_id", *r6("d_value", "d_speed"))
+    return series.deltas(
+        st.sensor(spark, d), ["value", "speed"], [0.0, 1.0]
+    ).select("session", "event_id", *r6("d_value", "d_speed"))
 
 
 @query(f"""WITH {st.EPISODES} SELECT id, CASE WHEN row_number() OVER (ORDER BY id) <= greatest(1, floor(count(*) OVER () * 0.8)) THEN 'train' ELSE 'val' END AS split FROM e""")
@@ -185,7 +213,9 @@ def semantic_topk(spark, d):
 
 @query(f"""WITH {st.EPISODES}, m AS (SELECT id, {HAV.format(a='12.97::DOUBLE', b='lat', c='77.59::DOUBLE', d='lon')} AS distance_m FROM e) SELECT id, round(distance_m, 4) AS distance_m FROM m WHERE distance_m <= 30000""")
 def geo_radius(spark, d):
-    return catalog.geo_radius(st.episodes(spark, d), 12.97, 77.59, 30_000.0).select("id", F.round("distance_m", 4).alias("distance_m"))
+    return catalog.geo_radius(st.episodes(spark, d), 12.97, 77.59, 30_000.0).select(
+        "id", F.round("distance_m", 4).alias("distance_m")
+    )
 
 
 @query("SELECT doc_id AS id, lang FROM documents WHERE contains(lower(text), 'of the') ORDER BY doc_id LIMIT 20")
@@ -197,7 +227,9 @@ def text_search(spark, d):
 @query(f"""WITH {st.EPISODES} SELECT scenario, grouping(scenario)::INT AS is_total, count(*) AS episodes, count(DISTINCT session) AS sessions, round(sum(frames / 30e0), 6) AS seconds, round(sum(frames / 30e0) / 3600, 6) AS hours FROM e GROUP BY ROLLUP (scenario)""")
 def catalog_stats_rollup(spark, d):
     e = st.episodes(spark, d).withColumn("seconds", F.col("frames") / 30.0)
-    return catalog.stats_by(e, "scenario", "session", "seconds").withColumns({c: F.round(c, 6) for c in ("seconds", "hours")})
+    return catalog.stats_by(e, "scenario", "session", "seconds").withColumns(
+        {c: F.round(c, 6) for c in ("seconds", "hours")}
+    )
 
 
 @query(f"WITH {st.EPISODES} SELECT id, frames, scenario FROM e WHERE session = 7 ORDER BY id")
@@ -228,14 +260,20 @@ def cascade_delete(spark, d):
 @query(f"""WITH {st.EPISODES} SELECT count(*) AS episodes, sum(frames)::BIGINT AS frames, round(sum(frames / 30e0), 6) AS seconds, count(DISTINCT session) AS sessions,
  (SELECT string_agg(p, ',' ORDER BY p) FROM (SELECT DISTINCT substr(scenario, 1, 2) AS p FROM e)) AS languages FROM e""")
 def dataset_stats(spark, d):
-    e = st.episodes(spark, d).withColumn("session", F.col("session").cast("string")).withColumn("instruction", F.col("scenario"))
+    e = st.episodes(spark, d).withColumn(
+        "session", F.col("session").cast("string")
+    ).withColumn("instruction", F.col("scenario"))
     return catalog.dataset_stats(e).withColumn("seconds", F.round("seconds", 6))
 
 
 @query(f"""WITH {st.EPISODES} SELECT count(DISTINCT session) AS sessions, count(*) AS episodes, round(sum(frames / 30e0) / 3600, 1) AS hours, round(100e0 * count(*) FILTER (WHERE status = 'O') / count(*)) AS percent_done FROM e""")
 def session_kpis(spark, d):
     e = st.episodes(spark, d)
-    return e.agg(F.countDistinct("session").alias("sessions"), F.count("*").alias("episodes"), F.round(F.sum(F.col("frames") / 30.0) / 3600, 1).alias("hours"), F.round(100 * F.count_if(F.col("status") == "O") / F.count("*")).alias("percent_done"))
+    return e.agg(
+        F.countDistinct("session").alias("sessions"), F.count("*").alias("episodes"),
+        F.round(F.sum(F.col("frames") / 30.0) / 3600, 1).alias("hours"),
+        F.round(100 * F.count_if(F.col("status") == "O") / F.count("*")).alias("percent_done"),
+    )
 
 
 def _like(words: list[str]) -> str:
@@ -256,8 +294,12 @@ def _segments(spark, d) -> DataFrame:
     docs = st.read(spark, d, "documents")
     k = F.col("doc_id")
     return docs.select(
-        "doc_id", "text", F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low")), (k % 3 + 1).cast("int")).alias("motion_level"),
-        (k % 4 == 0).alias("is_stationary"), F.when(k % 5 != 0, (k % 25).cast("double")).alias("speed_kmh"), F.element_at(F.array(F.lit(0.8), F.lit(0.7), F.lit(0.6)), (k % 3 + 1).cast("int")).alias("motion_conf"), F.lit(0.5).alias("gps_conf"),
+        "doc_id", "text", F.element_at(
+            F.array(F.lit("high"), F.lit("medium"), F.lit("low")), (k % 3 + 1).cast("int")
+        ).alias("motion_level"),
+        (k % 4 == 0).alias("is_stationary"), F.when(k % 5 != 0, (k % 25).cast("double")).alias("speed_kmh"), F.element_at(
+            F.array(F.lit(0.8), F.lit(0.7), F.lit(0.6)), (k % 3 + 1).cast("int")
+        ).alias("motion_conf"), F.lit(0.5).alias("gps_conf"),
     )
 
 
@@ -266,7 +308,9 @@ _TOLD = "'motion' || CASE WHEN said <> '' THEN ',whisper' ELSE '' END || CASE WH
 
 @query(_LABELS + f" SELECT doc_id, action_type, action_conf, scenario, round(0.4 * action_conf + 0.3 * motion_conf + 0.15, 2) AS confidence, {_TOLD} AS sources FROM x")
 def action_scenario_label(spark, d):
-    return labeling.auto_label(_segments(spark, d), "general").select("doc_id", "action_type", "action_conf", "scenario", "confidence", "sources")
+    return labeling.auto_label(_segments(spark, d), "general").select(
+        "doc_id", "action_type", "action_conf", "scenario", "confidence", "sources"
+    )
 
 
 def _replaced(x: str) -> str:
@@ -275,20 +319,26 @@ def _replaced(x: str) -> str:
     return x
 
 
-_TEMPLATE = lambda k: "CASE action_type " + " ".join(f"WHEN '{a}' THEN '{t[k]}'" for a, t in text.TEMPLATES.items()) + f" ELSE '{text.DEFAULT_TEMPLATE[k]}' END"
+_TEMPLATE = lambda k: "CASE action_type " + " ".join(
+    f"WHEN '{a}' THEN '{t[k]}'" for a, t in text.TEMPLATES.items()
+) + f" ELSE '{text.DEFAULT_TEMPLATE[k]}' END"
 
 
 @query(_LABELS + f""" SELECT doc_id, CASE WHEN length(said) > 3 THEN said ELSE {_TEMPLATE(0)} END AS instruction_hi,
  CASE WHEN length(said) > 3 THEN CASE WHEN {_replaced('said')} <> said THEN {_replaced('said')} ELSE '[' || action_type || ']' END ELSE {_TEMPLATE(1)} END AS instruction_en,
  {_TOLD} AS sources FROM x""")
 def instruction_build(spark, d):
-    return labeling.auto_label(_segments(spark, d), "general").select("doc_id", "instruction_hi", "instruction_en", "sources")
+    return labeling.auto_label(_segments(spark, d), "general").select(
+        "doc_id", "instruction_hi", "instruction_en", "sources"
+    )
 
 
 @query(_LABELS + """ SELECT 'action_type' AS "column", action_type AS value, count(*) AS n FROM x GROUP BY action_type UNION ALL SELECT 'scenario', scenario, count(*) FROM x GROUP BY scenario
  UNION ALL SELECT 'motion_level', motion_level, count(*) FROM x GROUP BY motion_level""")
 def auto_label_summary(spark, d):
-    return labeling.counts(labeling.auto_label(_segments(spark, d), "general"), ["action_type", "scenario", "motion_level"])
+    return labeling.counts(
+        labeling.auto_label(_segments(spark, d), "general"), ["action_type", "scenario", "motion_level"]
+    )
 
 
 _VOCAB = "[" + ", ".join(f"'{w}'" for w in text.VOCABULARY) + "]"
@@ -307,20 +357,26 @@ def embed_text_tf(spark, d):
     from pyspark.sql import Window
 
     n = terms.embed_term_counts(st.read(spark, d, "documents")).groupBy("doc_id", "slot").agg(F.sum("n").alias("n"))
-    return n.withColumn("weight", F.round(F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy("doc_id"))), 6))
+    return n.withColumn(
+        "weight", F.round(F.col("n") / F.sqrt(F.sum(F.col("n") * F.col("n")).over(Window.partitionBy("doc_id"))), 6)
+    )
 
 
 @query("""SELECT doc_id, array_to_string(list_transform(range(1, 51), lambda j: CASE WHEN j <= length(text) THEN unicode(substr(text, j::INT, 1)) % 32000 ELSE 0 END), ',') AS tokens,
  array_to_string(list_transform(range(1, 51), lambda j: (j <= length(text))::INT), ',') AS mask FROM documents""")
 def tokenize_codepoints(spark, d):
     ids, mask = text.code_points(F.col("text"), 50), text.attention_mask(F.col("text"), 50)
-    return st.read(spark, d, "documents").select("doc_id", *(F.array_join(c.cast("array<string>"), ",").alias(n) for c, n in ((ids, "tokens"), (mask, "mask"))))
+    return st.read(spark, d, "documents").select(
+        "doc_id", *(F.array_join(c.cast("array<string>"), ",").alias(n) for c, n in ((ids, "tokens"), (mask, "mask")))
+    )
 
 
 @query(f"""WITH {st.EPISODES} SELECT session, CASE WHEN count(*) >= 2 THEN 'LINESTRING(' || string_agg(frames || ' ' || id, ', ' ORDER BY id) || ')' END AS line FROM e GROUP BY session""")
 def wkt_lines(spark, d):
     points = F.array_sort(F.collect_list(F.struct(F.col("id").alias("lat"), F.col("frames").alias("lon"))))
-    return st.episodes(spark, d).groupBy("session").agg(points.alias("points")).select("session", geo.wkt_line(F.col("points")).alias("line"))
+    return st.episodes(spark, d).groupBy("session").agg(points.alias("points")).select(
+        "session", geo.wkt_line(F.col("points")).alias("line")
+    )
 
 
 @query(f"""WITH {st.EPISODES} SELECT id, 'POINT(' || frames || ' ' || session || ')' AS point FROM e""")
@@ -336,7 +392,9 @@ def vector_literal(spark, d):
 def _annotation_json(spark, d) -> DataFrame:
     lab = st.read(spark, d, "labels")
     body = F.concat(F.lit('[{"from_name":"action_type","value":{"choices":["a'), F.col("quality").cast("string"), F.lit('"]}},{"from_name":"quality","value":{"rating":'), F.col("toxic").cast("string"), F.lit("}},"),
-                    F.lit('{"from_name":"instruction_hi","value":{"text":["'), F.when(F.col("doc_id") % 2 == 0, F.lit("hi")).otherwise(F.lit("")), F.lit('"]}},{"from_name":"instruction_en","value":{"text":["en"]}},'),
+                    F.lit('{"from_name":"instruction_hi","value":{"text":["'), F.when(F.col("doc_id") % 2 == 0, F.lit("hi")).otherwise(F.lit("")), F.lit(
+                        '"]}},{"from_name":"instruction_en","value":{"text":["en"]}},'
+                    ),
                     F.lit('{"from_name":"objects","value":{"x":1.5,"width":2}}]'))
     return lab.select("doc_id", body.alias("annotation"))
 
@@ -344,7 +402,10 @@ def _annotation_json(spark, d) -> DataFrame:
 @query("SELECT doc_id, 'a' || quality AS action_type, '' AS scenario, CASE WHEN doc_id % 2 = 0 THEN 'hi' ELSE '' END AS instruction_hi, 'en' AS instruction_en, toxic::INT AS quality, 1 AS n_boxes, 'unknown' AS box_label FROM labels")
 def annotation_parse(spark, d):
     p = labeling.parse_annotations(_annotation_json(spark, d))
-    return p.select("doc_id", "action_type", "scenario", "instruction_hi", "instruction_en", "quality", F.size("bboxes").alias("n_boxes"), F.col("bboxes")[0]["label"].alias("box_label"))
+    return p.select(
+        "doc_id", "action_type", "scenario", "instruction_hi", "instruction_en", "quality",
+        F.size("bboxes").alias("n_boxes"), F.col("bboxes")[0]["label"].alias("box_label"),
+    )
 
 
 @query("""SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN d.source WHEN d.doc_id % 2 = 0 THEN 'hi' ELSE 'en' END AS instruction, l.doc_id IS NOT NULL AS annotated FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)""")
@@ -371,10 +432,17 @@ def _validated(spark, d) -> DataFrame:
     e = st.episodes(spark, d)
     k = F.col("id")
     flags = {f"has_{c}": k % 11 != n for n, c in enumerate(validation.REQUIRED)}
-    values = F.array((k % 130).cast("double"), F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(0.0), F.when(k % 19 == 0, F.lit(float("-inf"))).otherwise(0.0))
+    values = F.array(
+        (k % 130).cast("double"), F.when(k % 17 == 0, F.lit(float("nan"))).otherwise(0.0),
+        F.when(k % 19 == 0, F.lit(float("-inf"))).otherwise(0.0),
+    )
     return e.withColumns(flags | {
-        "path": k.cast("string"), "height": (k % 100 + 20).cast("int"), "width": (k % 70 * 30).cast("int"), "channels": (k % 5).cast("int"), "audio_rows": F.col("frames") - (k % 23 == 0).cast("long"),
-        "imu_rows": F.col("frames") + (k % 13 == 0).cast("long"), "action_rows": F.col("frames") + (k % 29 == 0).cast("long"), "instruction": F.when(k % 6 == 0, " ").otherwise("go"), "action_values": values,
+        "path": k.cast("string"), "height": (
+            k % 100 + 20
+        ).cast("int"), "width": (k % 70 * 30).cast("int"), "channels": (k % 5).cast("int"), "audio_rows": F.col("frames") - (k % 23 == 0).cast("long"),
+        "imu_rows": F.col("frames") + (k % 13 == 0).cast("long"), "action_rows": F.col("frames") + (k % 29 == 0).cast("long"), "instruction": F.when(
+            k % 6 == 0, " "
+        ).otherwise("go"), "action_values": values,
     })
 
 
@@ -401,7 +469,10 @@ def validation_report(spark, d):
 @query(f"""WITH {st.FRAMES} SELECT session, frame, round(value * 2, 6) AS w0, round(coalesce(lead(value) OVER (PARTITION BY session ORDER BY frame), 0) * 2, 6) AS w1 FROM f""")
 def audio_window(spark, d):
     w = intervals.window_rows(st.frames(spark, d), "frame", "value", 2)
-    return w.select("session", "frame", F.round(F.col("window")[0] * 2, 6).alias("w0"), F.round(F.col("window")[1] * 2, 6).alias("w1"))
+    return w.select(
+        "session", "frame", F.round(F.col("window")[0] * 2, 6).alias("w0"),
+        F.round(F.col("window")[1] * 2, 6).alias("w1"),
+    )
 
 
 _NAMES = "CASE id % 4 WHEN 0 THEN 's-' || session WHEN 1 THEN '0F8FAD5B-D9CB-469F-A165-' || lpad(id::VARCHAR, 12, '0') WHEN 2 THEN '-' || session ELSE 'x' END"
@@ -412,25 +483,36 @@ _NAMES = "CASE id % 4 WHEN 0 THEN 's-' || session WHEN 1 THEN '0F8FAD5B-D9CB-469
 def format_checks(spark, d):
     k, text_ = F.col("id"), F.col("session").cast("string")
     uuid = F.concat(F.lit("0F8FAD5B-D9CB-469F-A165-"), F.lpad(k.cast("string"), 12, "0"))
-    name = F.when(k % 4 == 0, F.concat(F.lit("s-"), text_)).when(k % 4 == 1, uuid).when(k % 4 == 2, F.concat(F.lit("-"), text_)).otherwise("x")
+    name = F.when(
+        k % 4 == 0, F.concat(F.lit("s-"), text_)
+    ).when(k % 4 == 1, uuid).when(k % 4 == 2, F.concat(F.lit("-"), text_)).otherwise("x")
     stem = F.when(k % 3 == 0, "ep_x").otherwise(F.concat(F.lit("ep_"), k.cast("string")))
-    return st.episodes(spark, d).select("id", formats.session_name_ok(name).alias("ok"), formats.episode_index(stem).alias("episode_index"), formats.clock(F.col("frames")).alias("clock"))
+    return st.episodes(spark, d).select(
+        "id", formats.session_name_ok(name).alias("ok"), formats.episode_index(stem).alias("episode_index"),
+        formats.clock(F.col("frames")).alias("clock"),
+    )
 
 
 @query(f"""WITH {st.EPISODES} SELECT id, round(CASE WHEN frames * 5 < 500 THEN 3e-4 * (frames * 5 + 1) / 500 ELSE 1e-6 + (3e-4 - 1e-6) / 2 * (1 + cos(pi() * (frames * 5 - 499) / 3000)) END, 9) AS rate FROM e""")
 def warmup_rate(spark, d):
-    return st.episodes(spark, d).select("id", F.round(formats.learning_rate(F.col("frames") * 5, 3000), 9).alias("rate"))
+    return st.episodes(spark, d).select(
+        "id", F.round(formats.learning_rate(F.col("frames") * 5, 3000), 9).alias("rate")
+    )
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, floor(t / 30)::BIGINT AS part, count(*) AS n, round(avg(value), 6) AS mean FROM s GROUP BY ALL""")
 def tumbling_chunks(spark, d):
     s = st.sensor(spark, d)
-    return s.groupBy("session", F.floor(F.col("t") / 30).cast("long").alias("part")).agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return s.groupBy("session", F.floor(F.col("t") / 30).cast("long").alias("part")).agg(
+        F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean")
+    )
 
 
 @query(f"""WITH {st.SENSOR} SELECT session, arg_max(event_id, t) AS event_id, count(*) AS received FROM s GROUP BY session""")
 def latest_fix(spark, d):
-    return st.sensor(spark, d).groupBy("session").agg(F.max_by("event_id", "t").alias("event_id"), F.count("*").alias("received"))
+    return st.sensor(spark, d).groupBy("session").agg(
+        F.max_by("event_id", "t").alias("event_id"), F.count("*").alias("received")
+    )
 
 
 @query("SELECT kind, n FROM (SELECT event_type AS kind, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, kind LIMIT 3)")
@@ -446,7 +528,9 @@ k AS (SELECT session, event_id, n, t, za AS a, zb AS b, 0e0 AS va, 0e0 AS vb, 1e
    FROM (SELECT o.*, a, b, va, vb, p00, p01, p11, CASE WHEN o.t > k.t THEN o.t - k.t ELSE 1e0 END AS dt FROM k JOIN o ON o.session = k.session AND o.n = k.n + 1) o)))
 SELECT session, event_id, round(a, 6) AS lat_smooth, round(b, 6) AS lon_smooth FROM k""")
 def kalman_smooth(spark, d):
-    out = folds.kalman(st.sensor(spark, d).select("session", "event_id", "t", "lat", "lon"), ["lat", "lon"], tie="event_id")
+    out = folds.kalman(
+        st.sensor(spark, d).select("session", "event_id", "t", "lat", "lon"), ["lat", "lon"], tie="event_id"
+    )
     return out.select("session", "event_id", *r6("lat_smooth", "lon_smooth"))
 
 
@@ -465,7 +549,10 @@ k AS (SELECT session, 0::BIGINT AS event_id, 0::BIGINT AS n, 0e0 AS x, 0e0 AS y,
    FROM k JOIN p ON p.session = k.session AND p.n = k.n + 1))
 SELECT session, event_id, round(x, 6) AS qx, round(y, 6) AS qy, round(z, 6) AS qz, round(w, 6) AS qw FROM k WHERE n > 0""")
 def quaternion_integrate(spark, d):
-    s = st.sensor(spark, d).select("session", "event_id", "t", (F.col("value") / 100).alias("gx"), (F.col("speed") / 10).alias("gy"), F.col("magnitude").alias("gz"))
+    s = st.sensor(spark, d).select(
+        "session", "event_id", "t", (F.col("value") / 100).alias("gx"), (F.col("speed") / 10).alias("gy"),
+        F.col("magnitude").alias("gz"),
+    )
     return folds.orientation(s, tie="event_id").select("session", "event_id", *r6("qx", "qy", "qz", "qw"))
 
 
@@ -486,7 +573,9 @@ r AS (SELECT session, i, {_PASS.format(v='v')} FROM (SELECT session, i, y AS v,
  UNION ALL SELECT session, i, {_PASS.format(v='v')} FROM (SELECT u.session, u.i, u.y AS v, r.z1, r.z2 FROM r JOIN u ON u.session = r.session AND u.i = r.i - 1))
 SELECT f.session, event_id, round(coalesce(r.y, x), 6) AS value_hp FROM f LEFT JOIN r ON r.session = f.session AND r.i = f.i""")
 def gravity_highpass(spark, d):
-    return folds.remove_gravity(st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"]).select("session", "event_id", *r6("value_hp"))
+    return folds.remove_gravity(
+        st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"]
+    ).select("session", "event_id", *r6("value_hp"))
 
 
 @query(f"""WITH {st.FRAMES}, h AS (SELECT k, CASE WHEN k = 0 THEN 1e0 ELSE sin(pi() * k / 3) / (pi() * k / 3) END * (SELECT sum(pow(2.5e0 * sqrt(1 - (k / 30e0) * (k / 30e0)), 2 * j) / (factorial(j::INT)::DOUBLE * factorial(j::INT)::DOUBLE)) FROM range(0, 25) t(j)) AS w FROM range(-30, 31) t(k)),
@@ -494,9 +583,13 @@ n AS (SELECT session, count(*) AS n FROM f GROUP BY session), m AS (SELECT sessi
 SELECT m.session, 16000 AS rate, place, round(sum(value * w) / (SELECT sum(w) FROM h), 6) AS sample FROM m JOIN f ON f.session = m.session AND frame BETWEEN 3 * place - 30 AND 3 * place + 30 JOIN h ON k = 3 * place - frame GROUP BY ALL""")
 def audio_resample(spark, d):
     f = st.frames(spark, d)
-    pcm = f.groupBy("session").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")).withColumn("rate", F.lit(48_000))
+    pcm = f.groupBy("session").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")
+    ).withColumn("rate", F.lit(48_000))
     out = folds.resample_audio(pcm, 16_000)
-    return out.select("session", "rate", F.posexplode("samples").alias("place", "sample")).withColumn("sample", F.round("sample", 6))
+    return out.select(
+        "session", "rate", F.posexplode("samples").alias("place", "sample")
+    ).withColumn("sample", F.round("sample", 6))
 
 
 _FEATURES = ", ".join(f'"{k.replace(".", "_")}":"{v}"' for k, v in writers.FEATURES.items()).replace(", ", ",")

@@ -24,7 +24,9 @@ def write_episodes(frames: DataFrame, path: str, by: tuple[str, ...] = ("session
     frames = episodes.complete_frames(frames, fps, by) if "imu" in frames.columns else frames
     if frames.isEmpty():
         raise ValueError("no frames to write")
-    frames.repartition(*by).sortWithinPartitions(*by, "frame_index").write.mode("overwrite").partitionBy(*by).parquet(path)
+    frames.repartition(*by).sortWithinPartitions(
+        *by, "frame_index"
+    ).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_processed(df: DataFrame, path: str) -> None:
@@ -77,31 +79,51 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-FEATURES = {"observation.image": "uint8", "observation.audio": "float32", "observation.imu": "float32", "action": "float32", "language_instruction": "string", "timestamp": "float64"}
+FEATURES = {
+    "observation.image": "uint8", "observation.audio": "float32", "observation.imu": "float32", "action": "float32",
+    "language_instruction": "string", "timestamp": "float64",
+}
 
 
 def dataset_info(rows: DataFrame, fps: float = 30.0) -> DataFrame:
     """One row with the JSON summary of a dataset: episodes, frames, distinct two-character language prefixes, fps and feature types."""
-    totals = rows.agg(F.count("*").alias("total_episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("total_frames"), F.array_sort(F.collect_set(F.substring("instruction", 1, 2))).alias("languages"))
+    totals = rows.agg(
+        F.count("*").alias("total_episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("total_frames"),
+        F.array_sort(F.collect_set(F.substring("instruction", 1, 2))).alias("languages"),
+    )
     features = F.struct(*(F.lit(v).alias(k.replace(".", "_")) for k, v in FEATURES.items()))
     return totals.select(F.to_json(F.struct("*", F.lit(fps).alias("fps"), features.alias("features"))).alias("info"))
 
 
 def run_info(rows: DataFrame, session_id: str, scenario: str, total_frames: int, fps: int = 30) -> DataFrame:
     """One row with the JSON summary of one session's episodes."""
-    fields = {"session_id": session_id, "scenario_type": scenario, "total_frames": total_frames, "fps": fps, "action_dim": 7}
-    return rows.agg(F.count("*").alias("num_episodes")).select(F.to_json(F.struct("num_episodes", *(F.lit(v).alias(k) for k, v in fields.items()), F.array(F.lit(224), F.lit(224)).alias("image_size"))).alias("info"))
+    fields = {
+        "session_id": session_id, "scenario_type": scenario, "total_frames": total_frames, "fps": fps, "action_dim": 7
+    }
+    return rows.agg(F.count("*").alias("num_episodes")).select(
+        F.to_json(
+            F.struct(
+                "num_episodes", *(F.lit(v).alias(k) for k, v in fields.items()),
+                F.array(F.lit(224), F.lit(224)).alias("image_size"),
+            )
+        ).alias("info")
+    )
 
 
 def dataset_card(stats: DataFrame) -> DataFrame:
     """A text about a dataset from catalog.dataset_stats."""
-    text = F.format_string("# Dataset\n\n%d episodes, %d frames, %.1f seconds, %d sessions\n", "episodes", "frames", F.col("seconds").cast("double"), "sessions")
+    text = F.format_string(
+        "# Dataset\n\n%d episodes, %d frames, %.1f seconds, %d sessions\n", "episodes", "frames",
+        F.col("seconds").cast("double"), "sessions",
+    )
     return stats.select(text.alias("card"))
 
 
 def save_state(spark: SparkSession, path: str, state: dict) -> None:
     """A run's state (done stages and their results) as a JSON file."""
-    spark.createDataFrame([(json.dumps(state, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    spark.createDataFrame(
+        [(json.dumps(state, sort_keys=True),)], "value string"
+    ).coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_state(spark: SparkSession, path: str) -> dict:
@@ -113,7 +135,9 @@ def load_state(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0]["value"]) if rows else {}
 
 
-def run_stages(spark: SparkSession, path: str, stages: list[tuple[str, Callable[[dict], object]]], resume: bool = True) -> dict:
+def run_stages(
+    spark: SparkSession, path: str, stages: list[tuple[str, Callable[[dict], object]]], resume: bool = True
+) -> dict:
     """Run stages in order, each with the results so far; a stage that a saved state has done is skipped."""
     state = load_state(spark, path) if resume else {}
     for name, work in stages:
@@ -126,7 +150,9 @@ def run_stages(spark: SparkSession, path: str, stages: list[tuple[str, Callable[
 def stage_table(spark: SparkSession, state: dict, names: list[str]) -> DataFrame:
     """(stage, done, result) of each stage, in order."""
     rows = [(k, n, n in state, json.dumps(state[n]) if n in state else None) for k, n in enumerate(names)]
-    return spark.createDataFrame(rows, "place int, stage string, done boolean, result string").orderBy("place").drop("place")
+    return spark.createDataFrame(
+        rows, "place int, stage string, done boolean, result string"
+    ).orderBy("place").drop("place")
 
 
 def land(spark: SparkSession, archive: bytes, folder: str, role: str = "upload") -> list[str]:
@@ -165,5 +191,7 @@ def write_results(path: str, **tables: DataFrame) -> None:
 
 def task_batches(df: DataFrame, order: str, size: int = 50) -> DataFrame:
     """A batch number per row, ``size`` rows each, through partition-wise numbering without one global sort task."""
-    ranked = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    ranked = df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()).withColumn(
+        "_i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    )
     return ranked.withColumn("batch", F.concat_ws("-", F.col("_p"), F.floor(F.col("_i") / size))).drop("_p", "_i")

@@ -36,7 +36,9 @@ SELECT session, (SELECT count(*) FROM pl WHERE pl.session = r.session) AS num_po
  string_agg(place || ':' || n, ',' ORDER BY n DESC, place) AS top_places FROM r WHERE k <= 3 GROUP BY session""")
 def gps_summary(spark, d):
     out = catalog.gps_summary(catalog.tag_places(_moved(spark, d)))
-    return out.withColumn("top_places", F.array_join(F.transform("top_places", lambda p: F.concat_ws(":", p["place_name"], p["n"])), ","))
+    return out.withColumn(
+        "top_places", F.array_join(F.transform("top_places", lambda p: F.concat_ws(":", p["place_name"], p["n"])), ",")
+    )
 
 
 @query(f"""WITH {st.SENSOR}, {MOTION} SELECT session, round(avg(speed_kmh), 6) AS mean_kmh, CASE WHEN avg(speed_kmh) > 15 THEN 'driving' WHEN avg(speed_kmh) > 3 THEN 'food_delivery' ELSE 'general' END AS scenario FROM motion GROUP BY session""")
@@ -61,13 +63,23 @@ SELECT g.session, g.frame, {_WIDE}, coalesce(x.value, 0) AS a0, coalesce(y.value
 FROM w g JOIN p ON p.session = g.session AND p.frame = g.frame JOIN n ON n.session = g.session AND n.frame = g.frame
 LEFT JOIN f x ON x.session = g.session AND x.frame = g.i LEFT JOIN f y ON y.session = g.session AND y.frame = g.i + 1""")
 def align_streams(spark, d):
-    s = st.sensor(spark, d).withColumns({"t": F.col("t") / 3600, "alt": (F.col("event_id") % 500).cast("double"), "speed_kmh": (F.col("event_id") % 160).cast("double"), "heading": F.col("speed") * 40})
+    s = st.sensor(spark, d).withColumns(
+        {
+            "t": F.col("t") / 3600, "alt": (F.col("event_id") % 500).cast("double"),
+            "speed_kmh": (F.col("event_id") % 160).cast("double"), "heading": F.col("speed") * 40,
+        }
+    )
     frames = series.grid(s, 4.0)
     frames = episodes.numbered(frames, ["t"], "frame")
-    pcm = st.frames(spark, d).groupBy("session").agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")).withColumn("rate", F.lit(1))
+    pcm = st.frames(spark, d).groupBy("session").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")
+    ).withColumn("rate", F.lit(1))
     out = composites.align_streams(frames, s, s, pcm, _CHANNELS, window=2.0, block=16, tie="event_id")
     names = [("imu", k, c) for k, c in enumerate(_CHANNELS)] + [("gps", k, c) for k, c in enumerate(_FIXES)]
-    return out.select("session", "frame", *(F.round(F.get(a, F.lit(k)), 6).alias(c) for a, k, c in names), *(F.get("audio", F.lit(k)).alias(f"a{k}") for k in (0, 1)))
+    return out.select(
+        "session", "frame", *(F.round(F.get(a, F.lit(k)), 6).alias(c) for a, k, c in names),
+        *(F.get("audio", F.lit(k)).alias(f"a{k}") for k in (0, 1)),
+    )
 
 
 _SEGMENTS = _HYST + """, seg AS (SELECT session, start_frame, end_frame, m, row_number() OVER (PARTITION BY session ORDER BY start_frame) - 1 AS segment FROM (
@@ -88,7 +100,9 @@ ep AS (SELECT kept.*, coalesce(instruction, 'none') AS instruction FROM kept LEF
 
 def _episodes(spark, d) -> DataFrame:
     lengths = st.frames(spark, d).groupBy("session").agg((F.count("*") - F.col("session") % 3).alias("n_frames"))
-    texts = st.transcripts(spark, d).withColumn("segment_index", F.when(F.col("ord") % 3 == 0, F.floor(F.col("ord") / 3)))
+    texts = st.transcripts(spark, d).withColumn(
+        "segment_index", F.when(F.col("ord") % 3 == 0, F.floor(F.col("ord") / 3))
+    )
     return episodes.cut_episodes(_segments(spark, d), lengths, texts, "none", 4, 3)
 
 
@@ -99,7 +113,9 @@ def cut_episodes(spark, d):
 
 @query(_EPISODES + " SELECT ep.session, episode_index, frame - start_frame AS frame_index, round(value, 6) AS value FROM ep JOIN f ON f.session = ep.session AND f.frame >= start_frame AND f.frame < end_frame")
 def episode_frames(spark, d):
-    return episodes.episode_frames(_episodes(spark, d), st.frames(spark, d).select("session", "frame", "value")).select("session", "episode_index", "frame_index", *r6("value"))
+    return episodes.episode_frames(
+        _episodes(spark, d), st.frames(spark, d).select("session", "frame", "value")
+    ).select("session", "episode_index", "frame_index", *r6("value"))
 
 
 @query(_SEGMENTS + " SELECT session, segment, (start_frame + end_frame) // 2 AS frame FROM seg WHERE segment < 5")
@@ -117,11 +133,17 @@ SELECT f.session, frame, round(CASE WHEN have >= want AND NOT (frame = 0 AND f.s
  10 AS n_imu, 6 AS n_gps, 7 AS n_action, round(CASE WHEN frame % 3 <> 0 THEN lat ELSE 0 END, 6) AS gps0, round(CASE WHEN frame % 3 <> 0 THEN lon ELSE 0 END, 6) AS gps1, 2 AS n_audio FROM f JOIN c USING (session)""")
 def frame_payload(spark, d):
     f = st.frames(spark, d)
-    imu = f.filter(~((F.col("frame") == 0) & (F.col("session") % 2 == 0))).select("session", "frame", F.array("value", "speed", "lat", "lon", "value", "magnitude").alias("values"))
+    imu = f.filter(~((F.col("frame") == 0) & (F.col("session") % 2 == 0))).select(
+        "session", "frame", F.array("value", "speed", "lat", "lon", "value", "magnitude").alias("values")
+    )
     gps = f.filter("frame % 3 <> 0").select("session", "frame", F.array("lat", "lon").alias("values"))
     out = episodes.frame_payload(f.select("session", "frame"), imu, gps, None, 2)
     at = lambda c, k, n: F.round(F.get(c, F.lit(k)), 6).alias(n)
-    return out.select("session", "frame", at("imu", 0, "imu0"), at("action", 5, "action5"), *(F.size(c).alias(f"n_{c}") for c in ("imu", "gps", "action", "audio")), at("gps", 0, "gps0"), at("gps", 1, "gps1"))
+    return out.select(
+        "session", "frame", at("imu", 0, "imu0"), at("action", 5, "action5"),
+        *(F.size(c).alias(f"n_{c}") for c in ("imu", "gps", "action", "audio")), at("gps", 0, "gps0"),
+        at("gps", 1, "gps1"),
+    )
 
 
 @query(f"""WITH {st.FRAMES} SELECT session, frame, round(coalesce(value - lag(value) OVER w, -value), 6) AS dx, round(coalesce(speed - lag(speed) OVER w, -speed), 6) AS dy, round(coalesce(lat - lag(lat) OVER w, -lat), 6) AS dz, round(coalesce(lon - lag(lon) OVER w, 1 - lon), 6) AS dw, 0e0 AS move
@@ -139,7 +161,12 @@ SELECT run, epoch, val_loss FROM (SELECT *, row_number() OVER (PARTITION BY run
 def best_checkpoint(spark, d):
     o = st.read(spark, d, "orders")
     k = F.col("o_orderkey")
-    return episodes.best_checkpoint(o.select(F.col("o_custkey").alias("run"), k.alias("epoch"), F.when(k % 7 == 0, None).otherwise((k % 50).cast("double")).alias("val_loss")))
+    return episodes.best_checkpoint(
+        o.select(
+            F.col("o_custkey").alias("run"), k.alias("epoch"),
+            F.when(k % 7 == 0, None).otherwise((k % 50).cast("double")).alias("val_loss"),
+        )
+    )
 
 
 _SAID = f"""{st.SENSOR}, {st.TRANSCRIPTS}, segs AS (SELECT session, k AS segment, k * 4 AS start_frame, k * 4 + 4 AS end_frame, ((session + k) % 12)::DOUBLE AS magnitude FROM (SELECT session, unnest(range(0, max(ord) // 2 + 1)) AS k FROM r GROUP BY session)),
@@ -154,9 +181,19 @@ w AS (SELECT *, {_ACTION} AS a_word, {_SCENARIO} AS s_word FROM k)"""
 
 def _labelled(spark, d) -> DataFrame:
     texts = st.transcripts(spark, d)
-    segs = texts.groupBy("session").agg(F.floor(F.max("ord") / 2).alias("_m")).select("session", F.explode(series.numbers(F.lit(0), F.col("_m"))).alias("segment"))
-    segs = segs.withColumns({"start_frame": F.col("segment") * 4, "end_frame": F.col("segment") * 4 + 4, "magnitude": ((F.col("session") + F.col("segment")) % 12).cast("double")})
-    gps = st.frames(spark, d).select("session", "frame", (F.col("event_id") % 3 != 0).alias("is_stationary"), (F.col("event_id") % 30).cast("double").alias("speed_kmh"))
+    segs = texts.groupBy("session").agg(F.floor(F.max("ord") / 2).alias("_m")).select(
+        "session", F.explode(series.numbers(F.lit(0), F.col("_m"))).alias("segment")
+    )
+    segs = segs.withColumns(
+        {
+            "start_frame": F.col("segment") * 4, "end_frame": F.col("segment") * 4 + 4,
+            "magnitude": ((F.col("session") + F.col("segment")) % 12).cast("double"),
+        }
+    )
+    gps = st.frames(spark, d).select(
+        "session", "frame", (F.col("event_id") % 3 != 0).alias("is_stationary"),
+        (F.col("event_id") % 30).cast("double").alias("speed_kmh"),
+    )
     return labeling.segment_labels(segs, texts, gps, 1.0)
 
 
@@ -164,7 +201,9 @@ def _labelled(spark, d) -> DataFrame:
  coalesce(s_word, CASE WHEN speed_kmh > 15 THEN 'driving' WHEN speed_kmh > 3 THEN 'food_delivery' ELSE 'general' END) AS scenario,
  'motion' || CASE WHEN said <> '' THEN ',whisper' ELSE '' END || CASE WHEN speed_kmh IS NOT NULL THEN ',gps' ELSE '' END AS sources FROM w""")
 def label_segments(spark, d):
-    return _labelled(spark, d).select("session", "segment", "is_stationary", "motion_level", "gps_conf", "text", "action_type", "scenario", "sources")
+    return _labelled(spark, d).select(
+        "session", "segment", "is_stationary", "motion_level", "gps_conf", "text", "action_type", "scenario", "sources"
+    )
 
 
 _COUNTED = lambda c: f"(SELECT string_agg(v || ':' || n, ',' ORDER BY v) FROM (SELECT {c} AS v, count(*) AS n FROM z GROUP BY {c})) AS {c}s"
@@ -175,7 +214,9 @@ _COUNTED = lambda c: f"(SELECT string_agg(v || ':' || n, ',' ORDER BY v) FROM (S
 SELECT count(*) AS total, count(*) FILTER (WHERE is_stationary) AS stationary_count, {_COUNTED('action_type')}, {_COUNTED('scenario')}, {_COUNTED('motion_level')} FROM z""")
 def label_summary(spark, d):
     flat = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["value"], x["n"])), ",").alias(c)
-    return labeling.label_summary(_labelled(spark, d)).select("total", "stationary_count", flat("action_types"), flat("scenarios"), flat("motion_levels"))
+    return labeling.label_summary(_labelled(spark, d)).select(
+        "total", "stationary_count", flat("action_types"), flat("scenarios"), flat("motion_levels")
+    )
 
 
 _RESULT = """'[{"from_name":"action_type","value":{"choices":["a' || quality || '"]}},{"from_name":"instruction_hi","value":{"text":["' || CASE WHEN doc_id % 2 = 0 THEN 'hi' ELSE '' END || '"]}}]'"""
@@ -187,16 +228,33 @@ x AS (SELECT coalesce(segment_index, id) AS episode_index, id, place, quality, a
 def _tasks(spark, d) -> DataFrame:
     k = F.col("doc_id")
     quality = F.col("quality").cast("string")
-    result = F.concat(F.lit('[{"from_name":"action_type","value":{"choices":["a'), quality, F.lit('"]}},{"from_name":"instruction_hi","value":{"text":["'), F.when(k % 2 == 0, "hi").otherwise(""), F.lit('"]}}]'))
-    data = F.struct(F.concat(F.lit("s"), (k % 20).cast("string")).alias("session_id"), F.lit(None).cast("long").alias("frame_index"), F.when(k % 5 != 0, F.floor(k / 2)).cast("long").alias("segment_index"), (k * 10).alias("start_frame"), (k * 10 + 10).alias("end_frame"))
-    note = lambda gone, who: F.struct(gone.alias("was_cancelled"), result.alias("result"), who.alias("completed_by"), F.lit("2024").alias("created_at"))
-    both = F.array(note(F.col("quality") != 1, F.concat(F.lit("p"), F.col("toxic").cast("string"))), note(F.when(F.col("toxic") != 0, True), F.lit("q")))
+    result = F.concat(
+        F.lit('[{"from_name":"action_type","value":{"choices":["a'), quality,
+        F.lit('"]}},{"from_name":"instruction_hi","value":{"text":["'), F.when(k % 2 == 0, "hi").otherwise(""),
+        F.lit('"]}}]'),
+    )
+    data = F.struct(
+        F.concat(F.lit("s"), (k % 20).cast("string")).alias("session_id"),
+        F.lit(None).cast("long").alias("frame_index"),
+        F.when(k % 5 != 0, F.floor(k / 2)).cast("long").alias("segment_index"), (k * 10).alias("start_frame"),
+        (k * 10 + 10).alias("end_frame"),
+    )
+    note = lambda gone, who: F.struct(
+        gone.alias("was_cancelled"), result.alias("result"), who.alias("completed_by"),
+        F.lit("2024").alias("created_at"),
+    )
+    both = F.array(
+        note(F.col("quality") != 1, F.concat(F.lit("p"), F.col("toxic").cast("string"))),
+        note(F.when(F.col("toxic") != 0, True), F.lit("q")),
+    )
     return st.read(spark, d, "labels").select(k.alias("id"), data.alias("data"), both.alias("annotations"))
 
 
 @query(f"WITH {_TASKS} SELECT id AS task_id, session_id, segment_index, id * 10 AS start_frame, place, result AS annotation, annotator FROM a")
 def pull_annotations(spark, d):
-    return labeling.pull_annotations(_tasks(spark, d)).select("task_id", "session_id", "segment_index", "start_frame", "place", "annotation", "annotator")
+    return labeling.pull_annotations(_tasks(spark, d)).select(
+        "task_id", "session_id", "segment_index", "start_frame", "place", "annotation", "annotator"
+    )
 
 
 def _index(spark, d) -> DataFrame:
@@ -206,14 +264,24 @@ def _index(spark, d) -> DataFrame:
 @query(f"""WITH {_TASKS} SELECT 'ep/' || e.id AS episode_path, episode_index, 'a' || quality AS action_type, '' AS scenario, CASE WHEN x.id % 2 = 0 THEN 'hi' ELSE '' END AS instruction_hi, 2 AS quality, annotator
 FROM x LEFT JOIN (SELECT doc_id AS id FROM documents WHERE doc_id % 3 = 0) e ON e.id = x.episode_index WHERE n = 1""")
 def annotation_lines(spark, d):
-    e = st.read(spark, d, "documents").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("episode_index"), F.concat(F.lit("ep/"), F.col("doc_id").cast("string")).alias("path"))
-    return labeling.annotation_lines(_index(spark, d), e).select("episode_path", "episode_index", "action_type", "scenario", "instruction_hi", "quality", "annotator")
+    e = st.read(spark, d, "documents").filter("doc_id % 3 = 0").select(
+        F.col("doc_id").alias("episode_index"), F.concat(F.lit("ep/"), F.col("doc_id").cast("string")).alias("path")
+    )
+    return labeling.annotation_lines(_index(spark, d), e).select(
+        "episode_path", "episode_index", "action_type", "scenario", "instruction_hi", "quality", "annotator"
+    )
 
 
 @query(f"""WITH {_TASKS} SELECT episode_index, 'a' || quality AS action_type, CASE WHEN id % 2 = 0 THEN 'hi' ELSE '' END AS instruction_hi, 2 AS quality, annotator, true AS is_human_labeled, '[]' AS bboxes_json FROM x WHERE n = 1""")
 def labels_group(spark, d):
     out = labeling.labels_group(_index(spark, d))
-    return out.select("episode_index", *(f"labels.{c}" for c in ("action_type", "instruction_hi", "quality", "annotator", "is_human_labeled", "bboxes_json")))
+    return out.select(
+        "episode_index",
+        *(
+            f"labels.{c}"
+            for c in ("action_type", "instruction_hi", "quality", "annotator", "is_human_labeled", "bboxes_json")
+        ),
+    )
 
 
 @query(f"WITH {_TASKS} SELECT count(*) AS total, count(x.episode_index) AS updated, count(*) - count(x.episode_index) AS skipped FROM (SELECT doc_id FROM documents WHERE doc_id % 3 = 0) e LEFT JOIN (SELECT episode_index FROM x WHERE n = 1) x ON x.episode_index = e.doc_id")
@@ -229,7 +297,9 @@ _SPOKEN = """c AS (SELECT conv_id AS session, turn AS ord, turn // 3 AS segment,
 def _spoken(spark, d) -> DataFrame:
     turn = F.col("turn")
     parts = st.read(spark, d, "conversations").select(
-        F.col("conv_id").alias("session"), turn.alias("ord"), F.floor(turn / 3).alias("segment"), F.when(turn % 7 == 3, "  ").otherwise(F.col("text")).alias("text"), F.when(turn % 2 == 0, "hi").alias("language"),
+        F.col("conv_id").alias("session"), turn.alias("ord"), F.floor(turn / 3).alias("segment"), F.when(
+            turn % 7 == 3, "  "
+        ).otherwise(F.col("text")).alias("text"), F.when(turn % 2 == 0, "hi").alias("language"),
         (turn % 4).alias("n_tokens"), F.when(turn % 5 != 0, 0.2 - (turn % 5) / 4).alias("avg_logprob"),
     )
     return transcripts.clean(parts)
@@ -245,7 +315,9 @@ SELECT session, segment, coalesce(text, '') AS text, round(coalesce(confidence,
 def transcript_segments(spark, d):
     c = st.read(spark, d, "conversations")
     segs = c.select(F.col("conv_id").alias("session"), F.floor(F.col("turn") / 3).alias("segment")).distinct()
-    return transcripts.by_segment(segs, _spoken(spark, d), ["session", "segment"]).select("session", "segment", "text", *r6("confidence"), "language")
+    return transcripts.by_segment(segs, _spoken(spark, d), ["session", "segment"]).select(
+        "session", "segment", "text", *r6("confidence"), "language"
+    )
 
 
 _QUEUE = """q AS (SELECT o_custkey AS session_id, o_orderkey AS chunk_index, ['pending', 'uploading', 'done', 'failed'][(o_orderkey % 4 + 1)::INT] AS status FROM orders)"""
@@ -253,8 +325,12 @@ _QUEUE = """q AS (SELECT o_custkey AS session_id, o_orderkey AS chunk_index, ['p
 
 def _queue(spark, d) -> DataFrame:
     k = F.col("o_orderkey")
-    status = F.element_at(F.array(*map(F.lit, (ingest.PENDING, ingest.UPLOADING, ingest.DONE, ingest.FAILED))), (k % 4 + 1).cast("int"))
-    return st.read(spark, d, "orders").select(F.col("o_custkey").alias("session_id"), k.alias("chunk_index"), status.alias("status"))
+    status = F.element_at(
+        F.array(*map(F.lit, (ingest.PENDING, ingest.UPLOADING, ingest.DONE, ingest.FAILED))), (k % 4 + 1).cast("int")
+    )
+    return st.read(spark, d, "orders").select(
+        F.col("o_custkey").alias("session_id"), k.alias("chunk_index"), status.alias("status")
+    )
 
 
 @query(f"WITH {_QUEUE} SELECT session_id, chunk_index, status FROM q WHERE status IN ('pending', 'uploading') ORDER BY session_id, chunk_index")
@@ -267,7 +343,10 @@ SELECT session_id, count(*) FILTER (WHERE status = 'pending') AS queued, count(*
 def settled_uploads(spark, d):
     q = _queue(spark, d)
     k = F.col("chunk_index")
-    told = q.filter(k % 3 != 2).select("session_id", "chunk_index", F.lit(True).alias("started"), F.when(k % 3 == 0, True).when(k % 2 == 0, False).alias("ok"))
+    told = q.filter(k % 3 != 2).select(
+        "session_id", "chunk_index", F.lit(True).alias("started"),
+        F.when(k % 3 == 0, True).when(k % 2 == 0, False).alias("ok"),
+    )
     return ingest.upload_stats(ingest.settle(q, told))
 
 
@@ -288,8 +367,17 @@ SELECT session, coalesce(arg_min(name, chunk) FILTER (WHERE name <> ''), session
  coalesce(sum(missing) FILTER (WHERE missing > 0), 0)::BIGINT AS missing, count(*) FILTER (WHERE late) AS late FROM n GROUP BY session""")
 def assemble_session(spark, d):
     k = F.col("chunk")
-    c = st.chunks(spark, d).withColumn("session_id", F.when(k % 2 == 0, "").otherwise(F.concat(F.lit("s"), F.col("session").cast("string"), F.lit("-"), k.cast("string"))))
-    return assembly.assemble(c).select("session", "session_id", "chunk_count", F.array_join(F.col("chunk_indices").cast("array<string>"), ",").alias("chunks"), *r6("seconds"), "missing", "late")
+    c = st.chunks(spark, d).withColumn(
+        "session_id",
+        F.when(k % 2 == 0, "").otherwise(
+            F.concat(F.lit("s"), F.col("session").cast("string"), F.lit("-"), k.cast("string"))
+        ),
+    )
+    return assembly.assemble(c).select(
+        "session", "session_id", "chunk_count",
+        F.array_join(F.col("chunk_indices").cast("array<string>"), ",").alias("chunks"), *r6("seconds"), "missing",
+        "late",
+    )
 
 
 @query(f"WITH {st.CHUNKS} SELECT session, chunk FROM c WHERE chunk % 2 = 0 INTERSECT SELECT session, chunk FROM c WHERE chunk % 3 = 0")
@@ -301,8 +389,13 @@ def common_chunks(spark, d):
 @query(f"""WITH {st.CHUNKS} SELECT session::VARCHAR AS session_id, round(CASE WHEN session % 5 = 0 THEN 0 ELSE max(end_time) END - min(start_time), 2) AS duration, CASE WHEN session % 2 = 0 THEN 'hi' ELSE '?' END AS language, session % 3 = 0 AS has_video, false AS has_audio, false AS has_imu FROM c GROUP BY session""")
 def session_summaries(spark, d):
     k = F.col("session")
-    s = st.chunks(spark, d).groupBy("session").agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
-    s = s.select(k.cast("string").alias("session_id"), "start_time", F.when(k % 5 != 0, F.col("end_time")).alias("end_time"), F.when(k % 2 == 0, "hi").alias("language"), F.when(k % 3 == 0, True).alias("has_video"))
+    s = st.chunks(spark, d).groupBy("session").agg(
+        F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time")
+    )
+    s = s.select(
+        k.cast("string").alias("session_id"), "start_time", F.when(k % 5 != 0, F.col("end_time")).alias("end_time"),
+        F.when(k % 2 == 0, "hi").alias("language"), F.when(k % 3 == 0, True).alias("has_video"),
+    )
     return catalog.session_summary(s).select("session_id", "duration", "language", "has_video", "has_audio", "has_imu")
 
 
@@ -314,10 +407,15 @@ SELECT vec_id, 512 AS n, round(CASE WHEN size > 0 THEN v[1] / 255e0 / size ELSE
 def image_embedding(spark, d):
     value = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000) % 256)
     raw = F.unhex(F.array_join(F.transform(value, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-    f = st.read(spark, d, "embeddings").select("vec_id", raw.alias("image"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels"))
+    f = st.read(spark, d, "embeddings").select(
+        "vec_id", raw.alias("image"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels")
+    )
     e = images.embed_images(f, ["vec_id"])
     total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x)
-    return e.select("vec_id", F.size("embedding").alias("n"), F.round(F.get("embedding", F.lit(0)), 6).alias("first"), F.round(F.get("embedding", F.lit(126)), 6).alias("last"), F.round(total, 6).alias("total"))
+    return e.select(
+        "vec_id", F.size("embedding").alias("n"), F.round(F.get("embedding", F.lit(0)), 6).alias("first"),
+        F.round(F.get("embedding", F.lit(126)), 6).alias("last"), F.round(total, 6).alias("total"),
+    )
 
 
 @query(f"""WITH {st.FRAMES} SELECT session, frame, CASE WHEN magnitude > 8 THEN 'high' WHEN magnitude > 2 THEN 'medium' ELSE 'low' END AS level, CASE WHEN magnitude > 8 THEN 0.8 WHEN magnitude > 2 THEN 0.7 ELSE 0.6 END::DOUBLE AS sure FROM (SELECT session, frame, magnitude * 3 AS magnitude FROM f)""")

@@ -47,7 +47,10 @@ def complete_chunks(files: DataFrame, late: str = "1 hour") -> DataFrame:
             yield pd.DataFrame({"session_id": [key[0]], "chunk_index": [key[1]], "received": [latest]})
 
     keyed = files.withWatermark("received", late).groupBy("session_id", "chunk_index")
-    return keyed.applyInPandasWithState(run, "session_id string, chunk_index int, received timestamp", "have int, done boolean", "append", "EventTimeTimeout")
+    return keyed.applyInPandasWithState(
+        run, "session_id string, chunk_index int, received timestamp", "have int, done boolean", "append",
+        "EventTimeTimeout",
+    )
 
 
 def queued(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -61,12 +64,16 @@ def session_counters(chunks: DataFrame) -> DataFrame:
 
 
 def latest_fix(fixes: DataFrame) -> DataFrame:
-    return fixes.groupBy("session_id").agg(F.max_by(F.struct("lat", "lon"), "timestamp").alias("fix"), F.max("timestamp").alias("timestamp"))
+    return fixes.groupBy("session_id").agg(
+        F.max_by(F.struct("lat", "lon"), "timestamp").alias("fix"), F.max("timestamp").alias("timestamp")
+    )
 
 
 def tumbling(samples: DataFrame, ts: str, value: str, width: str = "30 seconds", late: str = "10 seconds") -> DataFrame:
     """Counts and means per session and fixed window."""
-    w = samples.withWatermark(ts, late).groupBy("session_id", F.window(ts, width).alias("w")).agg(F.count("*").alias("n"), F.avg(value).alias("mean"))
+    w = samples.withWatermark(ts, late).groupBy("session_id", F.window(ts, width).alias("w")).agg(
+        F.count("*").alias("n"), F.avg(value).alias("mean")
+    )
     return w.select("session_id", F.col("w.start").alias("start"), "n", "mean")
 
 
@@ -99,7 +106,9 @@ PENDING, UPLOADING, DONE, FAILED = "pending", "uploading", "done", "failed"
 WAITS = (2.0, 4.0, 8.0)
 
 
-def with_retries(work: Callable[[], bool | None], waits: tuple[float, ...] = WAITS, wait: Callable[[float], bool | None] = time.sleep) -> bool:
+def with_retries(
+    work: Callable[[], bool | None], waits: tuple[float, ...] = WAITS, wait: Callable[[float], bool | None] = time.sleep
+) -> bool:
     """Whether ``work`` succeeded (returned something else than False, raised nothing), tried once per wait; ``wait``
     returning True stops."""
     for seconds in waits:
@@ -113,7 +122,10 @@ def with_retries(work: Callable[[], bool | None], waits: tuple[float, ...] = WAI
     return False
 
 
-def run_batches(stream: DataFrame, sink: Callable[[DataFrame, int], bool | None], checkpoint: str, every: str = "5 seconds", waits: tuple[float, ...] = WAITS, wait: Callable[[float], bool | None] = time.sleep, once: bool = False):
+def run_batches(
+    stream: DataFrame, sink: Callable[[DataFrame, int], bool | None], checkpoint: str, every: str = "5 seconds",
+    waits: tuple[float, ...] = WAITS, wait: Callable[[float], bool | None] = time.sleep, once: bool = False,
+):
     """Start a query that hands each micro-batch to ``sink``, again after each wait if it fails; a batch that fails every
     time ends the query and is replayed by the next start.  ``once``: what is there, then the end."""
 
@@ -149,26 +161,37 @@ def upload_stats(queue: DataFrame) -> DataFrame:
 def settle(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
     """The queue after outcomes (session_id, chunk_index, started, ok): ok null and started: uploading; true: done; false:
     failed.  Done and failed chunks don't change."""
-    told = outcomes.groupBy("session_id", "chunk_index").agg(F.max("started").alias("_started"), F.max("ok").alias("_ok"))
-    now = F.when(F.col("status").isin(DONE, FAILED), F.col("status")).when(F.col("_ok"), DONE).when(~F.col("_ok"), FAILED).when(F.col("_started"), UPLOADING).otherwise(F.col("status"))
+    told = outcomes.groupBy("session_id", "chunk_index").agg(
+        F.max("started").alias("_started"), F.max("ok").alias("_ok")
+    )
+    now = F.when(
+        F.col("status").isin(DONE, FAILED), F.col("status")
+    ).when(F.col("_ok"), DONE).when(~F.col("_ok"), FAILED).when(F.col("_started"), UPLOADING).otherwise(F.col("status"))
     return queue.join(told, ["session_id", "chunk_index"], "left").withColumn("status", now).drop("_started", "_ok")
 
 
 def sessions(chunks: DataFrame, finalised: DataFrame) -> DataFrame:
     """Counters of each session of a batch and whether it was closed by a control record (session_id); a closed session is queued for assembly."""
     closed = finalised.select("session_id").distinct().withColumn("_closed", F.lit(True))
-    out = session_counters(chunks).join(closed, "session_id", "left").withColumn("is_finalized", F.coalesce("_closed", F.lit(False))).drop("_closed")
+    out = session_counters(chunks).join(closed, "session_id", "left").withColumn(
+        "is_finalized", F.coalesce("_closed", F.lit(False))
+    ).drop("_closed")
     return out.withColumn("assembly_status", F.when(F.col("is_finalized"), "queued").otherwise("receiving"))
 
 
 def closing(records: DataFrame, late: str = "1 hour") -> DataFrame:
     """Of a stream of records (session_id, kind, received): each session once, when its first ``finalize`` record comes."""
-    return records.filter("kind = 'finalize'").withWatermark("received", late).dropDuplicatesWithinWatermark(["session_id"]).select("session_id", "received")
+    return records.filter("kind = 'finalize'").withWatermark("received", late).dropDuplicatesWithinWatermark(["session_id"]).select(
+        "session_id", "received"
+    )
 
 
 def simulated_imu(spark: SparkSession, rows_per_second: int = 100, seed: int = 7) -> DataFrame:
     """A stream of inertial rows at rest with noise: gravity on the third axis."""
     rows = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     noise = lambda k, size: F.randn(seed + k) * size
-    names = {"accel_x": noise(0, 0.1), "accel_y": noise(1, 0.1), "accel_z": noise(2, 0.1) + 9.81, "gyro_x": noise(3, 0.01), "gyro_y": noise(4, 0.01), "gyro_z": noise(5, 0.01)}
+    names = {
+        "accel_x": noise(0, 0.1), "accel_y": noise(1, 0.1), "accel_z": noise(2, 0.1) + 9.81, "gyro_x": noise(3, 0.01),
+        "gyro_y": noise(4, 0.01), "gyro_z": noise(5, 0.01),
+    }
     return rows.select(F.col("timestamp"), F.col("value").alias("seq"), *(v.alias(c) for c, v in names.items()))
