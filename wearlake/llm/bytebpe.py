@@ -25,7 +25,7 @@ from wearlake.llm import textvec as tv
 _U = np.uint64
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: Pieces kept in a table before it is emptied.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 #: Bytes of a text worked through at once.
 SLICE = 1 << 21
 
@@ -159,6 +159,25 @@ def slices(data: np.ndarray, most: int | None = None) -> list[int]:
     return [*cuts, len(data)]
 
 
+class _Column:
+    """Numbers that are appended to; ``all`` is those there are, without a copy."""
+
+    def __init__(self, kind: type, first: int = 0):
+        self.room, self.size = np.zeros(1024, kind), first
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+    def append(self, more: np.ndarray) -> None:
+        if self.size + len(more) > len(self.room):
+            room = np.empty(max(2 * len(self.room), self.size + len(more)), self.room.dtype)
+            room[: self.size] = self.all
+            self.room = room
+        self.room[self.size : self.size + len(more)] = more
+        self.size += len(more)
+
+
 class _Pieces:
     """Distinct pieces in an open hash table, extended in batches.  Pieces with equal hashes are told apart by their bytes."""
 
@@ -167,8 +186,7 @@ class _Pieces:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, _U)
-        self.words, self.begin_words, self.sizes = np.zeros(0, _U), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.keys, self.words, self.begin_words, self.sizes = _Column(_U), _Column(_U), _Column(np.int64, 1), _Column(np.int64)
         self.table = np.full(1 << 21, -1, np.int32)  # more than 4 places a piece
         self.odd: dict[bytes, int] = {}  # pieces whose hash another piece has
 
@@ -177,13 +195,13 @@ class _Pieces:
         mask = _U(len(self.table) - 1)
         place = hashes & mask
         out = self.table.take(place.astype(np.int64))
-        if not len(self.keys):
+        if not self.keys.size:
             return out
-        left = np.flatnonzero((out >= 0) & (self.keys.take(out, mode="clip") != hashes))
+        left = np.flatnonzero((out >= 0) & (self.keys.all.take(out, mode="clip") != hashes))
         while len(left):
             place[left] = place[left] + _U(1) & mask
             out[left] = self.table.take(place[left].astype(np.int64))
-            left = left[(out[left] >= 0) & (self.keys.take(out[left], mode="clip") != hashes[left])]
+            left = left[(out[left] >= 0) & (self.keys.all.take(out[left], mode="clip") != hashes[left])]
         return out
 
     def enter(self, hashes: np.ndarray, pieces: np.ndarray) -> None:
@@ -202,19 +220,19 @@ class _Pieces:
         ends: np.ndarray,
     ) -> np.ndarray:
         """Add pieces; returns their numbers."""
-        first = len(self.keys)
-        self.keys = np.concatenate((self.keys, hashes))
+        first = self.keys.size
+        self.keys.append(hashes)
         number = np.diff(begin)
         at = np.repeat(begin[:-1] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
-        self.words = np.concatenate((self.words, words[at]))
-        self.begin_words = np.concatenate((self.begin_words, self.begin_words[-1] + np.cumsum(number)))
-        self.sizes = np.concatenate((self.sizes, ends - starts))
+        self.words.append(words[at])
+        self.begin_words.append(self.begin_words.all[-1] + np.cumsum(number))
+        self.sizes.append(ends - starts)
         self.add(data, starts, ends)
-        return np.arange(first, len(self.keys))
+        return np.arange(first, self.keys.size)
 
     def resolve(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of each piece; new pieces are added."""
-        if len(self.keys) > CACHE_PIECES:
+        if self.keys.size > CACHE_PIECES:
             self.clear()
         size = ends - starts
         words, begin = tv.span_words(data, starts, ends)
@@ -224,10 +242,10 @@ class _Pieces:
         if len(new):
             _, where = np.unique(hashes[new], return_index=True)
             pick = np.sort(new[where])
-            while 4 * (len(self.keys) + len(pick)) > len(self.table):  # many new pieces at once
+            while 4 * (self.keys.size + len(pick)) > len(self.table):  # many new pieces at once
                 self.table = np.full(2 * len(self.table), -1, np.int32)
-                plain = np.setdiff1d(np.arange(len(self.keys)), np.fromiter(self.odd.values(), np.int64, len(self.odd)))
-                self.enter(self.keys[plain], plain.astype(np.int32))
+                plain = np.setdiff1d(np.arange(self.keys.size), np.fromiter(self.odd.values(), np.int64, len(self.odd)))
+                self.enter(self.keys.all[plain], plain.astype(np.int32))
             number = begin[pick + 1] - begin[pick]
             own = np.concatenate((np.zeros(1, np.int64), np.cumsum(number)))
             at = np.repeat(begin[pick] - own[:-1], number) + np.arange(own[-1])
@@ -235,10 +253,10 @@ class _Pieces:
             self.enter(hashes[pick], added.astype(np.int32))
             slot[new] = self.find(hashes[new])
         number = np.diff(begin)
-        stored = self.words.take(
-            np.repeat(self.begin_words[slot] - begin[:-1], number) + np.arange(len(words)), mode="clip"
+        stored = self.words.all.take(
+            np.repeat(self.begin_words.all[slot] - begin[:-1], number) + np.arange(len(words)), mode="clip"
         )
-        wrong = self.sizes[slot] != size
+        wrong = self.sizes.all[slot] != size
         differing = np.flatnonzero(stored != words)
         if len(differing):
             wrong[np.searchsorted(begin, differing, side="right") - 1] = True
@@ -274,7 +292,7 @@ class LibraryIds(_Pieces):
 
     def clear(self) -> None:
         super().clear()
-        self.begin, self.length, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.begin, self.length, self.flat = _Column(np.int64), _Column(np.int64), _Column(np.uint32)
 
     def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has.
@@ -320,9 +338,9 @@ class LibraryIds(_Pieces):
         texts = [(raw[a:b] if raw is not None else data[a:b].tobytes()).decode() for a, b in zip(starts.tolist(), ends.tolist())]
         for k in range(0, len(texts), 50_000):
             ids, sizes = self.library(texts[k : k + 50_000])
-            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(sizes) - sizes))
-            self.length = np.concatenate((self.length, sizes))
-            self.flat = np.concatenate((self.flat, ids))
+            self.begin.append(self.flat.size + np.cumsum(sizes) - sizes)
+            self.length.append(sizes)
+            self.flat.append(ids)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the index of each text's first (n + 1 values)."""
@@ -338,11 +356,11 @@ class LibraryIds(_Pieces):
         starts, first = pretokens(data, offsets)
         ends = np.concatenate((starts[1:], [len(data)])) if len(starts) else starts
         slot = self.resolve(data, starts, ends) if len(starts) else starts
-        size = self.length[slot] if len(starts) else np.zeros(0, np.int64)
+        size = self.length.all[slot] if len(starts) else np.zeros(0, np.int64)
         upto = np.concatenate(([0], np.cumsum(size)))
-        ids = self.flat[
-            np.repeat(self.begin[slot] - upto[:-1], size) + np.arange(upto[-1])
-        ] if len(starts) else self.flat[:0]
+        ids = self.flat.all[:0]
+        if len(starts):
+            ids = self.flat.all.take(np.repeat(self.begin.all[slot] - upto[:-1], size) + np.arange(upto[-1]))
         begin = upto[first]
         special = self.with_special(data, offsets)
         if special:
@@ -374,7 +392,7 @@ class RankCounter(_Pieces):
 
     def clear(self) -> None:
         super().clear()
-        self.count = np.zeros(0, np.int64)
+        self.count = _Column(np.int64)
 
     def merged(self, symbols: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """How many symbols each of n sequences keeps.  symbols: all sequences in a row; owner: the sequence of each, ascending."""
@@ -412,7 +430,7 @@ class RankCounter(_Pieces):
         upto = np.concatenate(([0], np.cumsum(size)))
         at = np.repeat(starts - upto[:-1], size) + np.arange(upto[-1])
         count = self.merged(self.symbol[data[at]], np.repeat(np.arange(len(size)), size), len(size))
-        self.count = np.concatenate((self.count, count))
+        self.count.append(count)
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text."""
@@ -428,7 +446,7 @@ class RankCounter(_Pieces):
         upto = np.zeros(1, np.int64)
         if len(starts):
             slot = self.resolve(data, starts, np.concatenate((starts[1:], [len(data)])))
-            upto = np.concatenate((upto, np.cumsum(self.count[slot])))
+            upto = np.concatenate((upto, np.cumsum(self.count.all[slot])))
         out = upto[first[1:]] - upto[first[:-1]]
         for t in self.with_special(data, offsets):
             parts = [data[offsets[t] : offsets[t + 1]].tobytes()]

@@ -59,7 +59,7 @@ def op9_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.scratch_path(spark)
     tokenfile.write_token_file(_read(spark, sf_dir, "documents"), path, TOKENIZER)
-    return tokenfile.read_token_file(spark, path).drop("ids")
+    return tokenfile.read_token_file(spark, path, with_ids=False)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

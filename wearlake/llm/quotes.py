@@ -201,10 +201,8 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     linked = F.col("best").isNotNull()
     before = F.coalesce("w_turn", "b_turn")
     told = joined.select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), F.concat(
-            F.lit("<|"), "role", F.lit("|>\n"), "own"
-        ).alias("formatted"),
-        "n_quotes", F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
+        "conv_id", "turn", "role", F.col("own").alias("text"), "n_quotes",
+        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         F.coalesce(
             F.when(linked, F.negate("best.back")).when(placed & before.isNotNull(), F.col("conv_id")), F.lit(-1)
         ).alias("parent_conv_id"),
@@ -224,10 +222,12 @@ def link_quotations(conversations: DataFrame) -> DataFrame:
     families = _before(
         counted.groupBy("conv_id", "_parent").agg(F.sum("n").alias("n")), ["conv_id"], "_parent", "n"
     ).withColumnRenamed("before", "_families")
-    ranked = told.join(siblings, ["conv_id", "_parent", "turn"], "left").join(families, ["conv_id", "_parent"], "left")
-    return ranked.withColumn(
-        "reply_rank", F.col("_siblings") + F.col("_families")
-    ).drop("_parent", "_siblings", "_families")
+    ranks = siblings.join(families, ["conv_id", "_parent"]).select(
+        "conv_id", "_parent", "turn", (F.col("_siblings") + F.col("_families")).alias("reply_rank")
+    )
+    ranked = told.join(ranks, ["conv_id", "_parent", "turn"], "left")
+    formatted = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text")
+    return ranked.withColumn("formatted", formatted).drop("_parent")
 
 
 def assembled(linked: DataFrame, messages: int = TURNS) -> DataFrame:

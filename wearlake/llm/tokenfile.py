@@ -131,14 +131,15 @@ def write_token_file(
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     place = ("id", F.xxhash64("text"), "text")
     sorted_rows = rows.repartitionByRange(max(1, -(-size // PART_BYTES)), *place[:2]).sortWithinPartitions(*place)
-    sorted_rows.mapInArrow(run, "part long, chunk long, first_id long, n_ids long, payload binary").write.parquet(path)
+    chunks = sorted_rows.mapInArrow(run, "part long, chunk long, first_id long, n_ids long, payload binary")
+    chunks.write.option("compression", "none").parquet(path)  # payloads are coded already
 
 
-def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
+def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """Per document from the files: id, start (ids of all documents before it), n_tokens, ids_crc32, ids.
 
-    Every block's checksum is verified.  Only one number per part reaches the
-    driver.
+    Every block is decoded and its checksum verified; without ``with_ids`` the
+    ids themselves stay behind.  Only one number per part reaches the driver.
     """
     chunks = spark.read.schema("part long, chunk long, first_id long, n_ids long, payload binary").parquet(path)
     sizes = {r["part"]: r["n"] for r in chunks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
@@ -154,16 +155,15 @@ def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id") -> D
                 at = np.concatenate(([0], np.cumsum(lengths)))
                 raw = memoryview(ids.astype("<u4").view(np.uint8))
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(doc_ids, pa.int64()), pa.array(base[part] + first + at[:-1]), pa.array(lengths),
-                        pa.array(crc, pa.int64()), lists,
-                    ],
-                    [id_col, "start", "n_tokens", "ids_crc32", "ids"],
-                )
-
-    return chunks.mapInArrow(run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(base[part] + first + at[:-1]), pa.array(lengths)]
+                columns.append(pa.array(crc, pa.int64()))
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [id_col, "start", "n_tokens", "ids_crc32", "ids"][: 5 if with_ids else 4]
+    kinds = f"`{id_col}` long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    return chunks.mapInArrow(run, kinds)
 
 
 def scratch_path(spark: SparkSession) -> str:
