@@ -339,6 +339,15 @@ def test_vectors(spark):
     assert none.count() == 0
 
 
+def test_vectors_with_other_labels_and_columns(spark):
+    x = [1.0, 2.0]
+    rows_ = [(1, x, "7"), (2, x, "7"), (3, x, "seven"), (4, x, None), (None, x, "7"), (2, x, "7")]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>, label string")
+    df = df.selectExpr("*", "1 AS node", "2 AS unit", "3 AS list", "4 AS q", "'m' AS m", "5 AS n_links", "6 AS component")
+    got = pqdedup.near_duplicate_vectors(df).toPandas()
+    assert sorted(got["n_links"]) == [0, 0, 3, 3, 3, 3] and sorted(got[got.n_links > 0]["component_id"]) == [1, 1, 1, 1]
+
+
 MESSAGES = [
     (1, 0, "user", "Hello there, how is the build?\n\nSecond para here."), (
         1, 1, "assistant", "> Hello there,  how IS the build?\n\nFine thanks."

@@ -123,7 +123,7 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
             )
 
     return vectors.select(
-        F.col(id_col).cast("long"), vec_col, F.col(label_col).cast("long")
+        F.col(id_col).try_cast("long"), vec_col, F.col(label_col).try_cast("long")
     ).mapInArrow(run, "vec_id long, node long, label long, width int, unit binary")
 
 
@@ -157,8 +157,9 @@ def near_duplicate_vectors(
 
     Vectors with equal labels and widths link at a cosine of ``cosine`` or more.
     Null or zero vectors, vectors with null or non-finite components and those
-    without a label link with nothing and are their own component.  Equal
-    vectors link.  n_links counts other rows; component_id is the smallest
+    without a label link with nothing and are their own component.  Ids and
+    labels are whole numbers; text is read as such where it is one, and any
+    other label is none.  Equal vectors link.  n_links counts other rows; component_id is the smallest
     vec_id reachable; kept is vec_id = component_id.  Repeated rows count as
     rows; other columns are left out; an empty table gives an empty result.
 
