@@ -70,29 +70,32 @@ def stationary(
 def _neighbours(
     samples: DataFrame, grid: DataFrame, columns: list[str], part: str, t: str, block: float, tie: str | None
 ) -> DataFrame:
-    """(part, t, _p, _n): for each grid time the last sample at or before it and the first after it, null where there is none.
+    """(part, t, _p, _n): for each grid time the last sample at or before it and the first after that, null where there is none.
 
-    A series is cut into blocks of ``block`` seconds, so that a long one isn't one task; each block has the nearest
-    samples outside it from a window over one row a block.
+    A series is cut into blocks of ``block`` seconds, so that a long one isn't one task.  A sample brings the next one of
+    its block along, so that one window over samples and grid is enough; the nearest samples outside a block come from
+    a window over one row a block.
     """
+    of_block, ties = F.floor(F.col(t) / block), [tie] if tie else []
     value = F.struct(F.col(t).alias("t"), *([F.col(tie).alias("tie")] if tie else []), *columns)
-    rows = samples.select(part, t, F.lit(0).alias("_grid"), value.alias("_s")).unionByName(
-        grid.select(part, t, F.lit(1).alias("_grid")), allowMissingColumns=True
-    )
-    rows = rows.withColumn("_block", F.floor(F.col(t) / block))
-    w = Window.partitionBy(part, "_block")
-    whole = (Window.unboundedPreceding, 0)
-    both = rows.withColumn("_p", F.last("_s", True).over(w.orderBy(t, "_grid", "_s").rowsBetween(*whole)))
-    both = both.withColumn(
-        "_n", F.last("_s", True).over(w.orderBy(F.desc(t), F.desc("_grid"), F.desc("_s")).rowsBetween(*whole))
-    ).filter("_grid = 1")
+    inside = Window.partitionBy(part, "_block").orderBy(t, *ties)
+    known = samples.withColumn("_block", of_block).withColumn("_v", value)
+    known = known.withColumn("_s", F.struct(F.col("_v").alias("own"), F.lead("_v").over(inside).alias("next")))
+    known = known.select(part, t, "_block", F.lit(0).alias("_grid"), *(F.col(c).alias("_tie") for c in ties), "_s")
+    asked = grid.select(part, t, of_block.alias("_block"), F.lit(1).alias("_grid"))
+    rows = known.unionByName(asked, allowMissingColumns=True)
+    order = Window.partitionBy(part, "_block").orderBy(t, "_grid", *("_tie" for _ in ties))
+    both = rows.withColumn("_p", F.last("_s", True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     by = Window.partitionBy(part)
-    ends = rows.groupBy(part, "_block").agg(F.max("_s").alias("_high"), F.min("_s").alias("_low"))
+    ends = samples.select(part, of_block.alias("_block"), value.alias("_v"))
+    ends = ends.unionByName(asked.select(part, "_block"), allowMissingColumns=True)
+    ends = ends.groupBy(part, "_block").agg(F.max("_v").alias("_high"), F.min("_v").alias("_low"))
     earlier = F.last("_high", True).over(by.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     later = F.last("_low", True).over(by.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.select(part, "_block", earlier.alias("_earlier"), later.alias("_later"))
-    joined = both.join(ends, [part, "_block"])
-    return joined.select(part, t, F.coalesce("_p", "_earlier").alias("_p"), F.coalesce("_n", "_later").alias("_n"))
+    ends = ends.select(part, "_block", "_low", earlier.alias("_earlier"), later.alias("_later"))
+    joined = both.filter("_grid = 1").join(ends, [part, "_block"])
+    following = F.when(F.col("_p").isNotNull(), F.coalesce("_p.next", "_later")).otherwise(F.coalesce("_low", "_later"))
+    return joined.select(part, t, F.coalesce("_p.own", "_earlier").alias("_p"), following.alias("_n"))
 
 
 def interpolate(
