@@ -25,7 +25,7 @@ DOCS = "doc_id long, text string"
 
 
 def slots(text):
-    """The reference's embed_text, in integers."""
+    """The terms of a text on their slots, in integers."""
     n = Counter()
     for t in re.findall(tx.TOKEN, (text or "").lower()):
         if t in tx.VOCABULARY:
