@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlake.llm import fingerprint, jaccard, mixing, packing, pqdedup, quality, quotes, tokencount, tokenfile, toxicity
+from wearlake.llm import (
+    fingerprint, jaccard, mixing, negatives, packing, pqdedup, quality, quotes, sharding, tokencount, tokenfile, toxicity,
+    whitening,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -62,6 +65,19 @@ def op10_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_file(spark, path, with_ids=False)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(_read(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.hard_negatives(_read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +87,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_toxicity, op2_token_counts, op3_packing, op4_quality, op5_embedding_dedup, op6_mixing, op7_fingerprints,
-        op8_jaccard_join, op9_chat_quotes, op10_token_file, pipeline,
+        op8_jaccard_join, op9_chat_quotes, op10_token_file, op11_whitening, op12_sharding, op13_hard_negatives, pipeline,
     )
     return {f.__name__: f for f in own}
 
