@@ -57,10 +57,10 @@ class Codebooks:
     def interval(self, anchors: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds of the scores of anchors with coded rows, from look-up tables."""
         parts = anchors.reshape(len(anchors), len(self.books), -1)
-        score, reach = np.zeros((len(anchors), len(codes))), np.zeros((len(anchors), len(codes)))
+        score = np.zeros((len(anchors), len(codes)))
         for j, book in enumerate(self.books):
-            score += (parts[:, j] @ book.T)[:, codes[:, j]]
-            reach += np.linalg.norm(parts[:, j], axis=1)[:, None] * norms[:, j].astype(float)[None, :]
+            score += np.take(parts[:, j] @ book.T, codes[:, j], axis=1)
+        reach = np.linalg.norm(parts, axis=2) @ norms.T.astype(float)
         # room for rounding: products of doubles of at most these sizes
         size = np.linalg.norm(anchors, axis=1)[:, None] * (np.abs(self.books).max(initial=0) * np.sqrt(self.dim) + 1)
         reach += 1e-12 * (size + np.abs(score)) + 1e-6
@@ -138,7 +138,7 @@ def _coded(rows: DataFrame, books: Codebooks) -> DataFrame:
 
 def _search(
     anchors: DataFrame, rows: DataFrame, by: list[str], books: Codebooks, block: int, asked: str, windows: str,
-    find: Callable[..., Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]],
+    find: Callable[..., Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]], most_parts: int = 100_000,
 ) -> DataFrame:
     """Anchors against the rows that agree with them in ``by``, in blocks of about ``block`` rows.
 
@@ -184,7 +184,9 @@ def _search(
             [pa.array(np.concatenate(o) if o else np.zeros(0, np.int64)).cast(kind) for o, kind in zip(out, kinds)], names=names
         )
 
-    both = left.unionByName(right)
+    # a cell is a second of work in few bytes: as many parts as cells, which Spark would put together by their size
+    cells = grid.agg(F.sum(F.col("a_blocks").cast("long") * F.col("r_blocks"))).first()[0] or 1
+    both = left.unionByName(right).repartition(int(min(cells, most_parts)), *by, "a", "r")
     return both.groupBy(*by, "a", "r").applyInArrow(
         run, "anchor_row long, anchor_id long, window int, row long, id long, score long"
     )
@@ -198,7 +200,11 @@ def _kth(values: np.ndarray, k: int) -> np.ndarray:
 
 
 def _exact(a: np.ndarray, i: np.ndarray, x: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whole scores of the pairs (i, j)."""
+    """Whole scores of the pairs (i, j); where they are many, by one product of doubles, which is exact below 2^53."""
+    if len(i) * 8 > len(a) * len(x):
+        one, other = a.astype(float), x.astype(float)
+        if np.linalg.norm(one, axis=1).max() * np.linalg.norm(other, axis=1).max() < 1 << 52:
+            return (one @ other.T)[i, j].astype(np.int64)
     parts = [np.einsum("ij,ij->i", a[i[k : k + 65536]], x[j[k : k + 65536]]) for k in range(0, len(i), 65536)]
     return np.concatenate([np.zeros(0, np.int64), *parts])
 
@@ -225,22 +231,31 @@ def _best_positives(k: int) -> Callable:
 def _best_negatives(k: int, floor: int, ceiling: int) -> Callable:
     def find(asked, a, self_row, x, row, ids, same, low, high):
         held = asked.offsets.to_numpy() - asked.offsets[0].as_py()
-        score_of = asked.flatten().to_numpy()
-        for w in range(int(np.diff(held).max(initial=0))):
-            at = np.flatnonzero(np.diff(held) > w)
-            p = score_of[held[at] + w]
+        positive, count = asked.flatten().to_numpy(), np.diff(held)
+        windows, may = [], np.zeros(same.shape, bool)
+        for w in range(int(count.max(initial=0))):
+            at = np.flatnonzero(count > w)
+            p = positive[held[at] + w]
             # 100 * score is between floor * p and ceiling * p; whole scores, so the ends are rounded inwards
             first, last = -((-floor * p) // 100), ceiling * p // 100
+            windows.append((at, first, last))
             lo, hi = low[at], high[at]
-            may = ~same[at] & (hi >= first[:, None]) & (lo <= last[:, None])
-            sure = may & (lo >= first[:, None]) & (hi <= last[:, None])
-            least = _kth(np.where(sure, lo, -np.inf), k)
-            i, j = np.nonzero(may & (hi >= least[:, None]))
-            score = _exact(a[at], i, x, j)
-            inside = (score >= first[i]) & (score <= last[i])
-            i, j, score = i[inside], j[inside], score[inside]
-            top = _first(i, score, ids[j], row[j], k)
-            yield at[i[top]], np.full(len(top), w, np.int32), j[top], score[top]
+            least = first.astype(float)
+            sure = ~same[at] & (lo >= first[:, None]) & (hi <= last[:, None])
+            if sure.any():
+                least = np.maximum(least, _kth(np.where(sure, lo, -np.inf), k))
+            may[at] |= (hi >= least[:, None]) & (lo <= last[:, None])
+        i, j = np.nonzero(may & ~same)
+        score = np.full(same.shape, np.iinfo(np.int64).min)  # of those that may count, all that a window can take
+        score[i, j] = _exact(a, i, x, j)
+        for w, (at, first, last) in enumerate(windows):
+            own = score[at]
+            own[own > last[:, None]] = np.iinfo(np.int64).min
+            least = np.partition(own, -k, axis=1)[:, -k] if own.shape[1] >= k else first
+            i, j = np.nonzero(own >= np.maximum(first, least)[:, None])
+            value = own[i, j]
+            top = _first(i, value, ids[j], row[j], k)
+            yield at[i[top]], np.full(len(top), w, np.int32), j[top], value[top]
 
     return find
 
