@@ -348,6 +348,23 @@ def test_vectors_with_other_labels_and_columns(spark):
     assert sorted(got["n_links"]) == [0, 0, 3, 3, 3, 3] and sorted(got[got.n_links > 0]["component_id"]) == [1, 1, 1, 1]
 
 
+@pytest.mark.parametrize(
+    ("kind", "labels", "links"),
+    [
+        ("double", [1.2, 1.7, 1.2, -0.0, 0.0], [1, 0, 1, 1, 1]),
+        ("string", ["1", "1.0", "1", "true", "x"], [1, 0, 1, 0, 0]),
+        ("boolean", [True, False, True, None, False], [1, 1, 1, 0, 1]),
+        ("array<int>", [[1], [1, 2], [1], None, [2]], [1, 0, 1, 0, 0]),
+    ],
+)
+def test_vectors_link_by_the_value_of_labels(spark, kind, labels, links):
+    df = spark.createDataFrame(
+        [(k, [1.0, 2.0], v) for k, v in enumerate(labels)], f"vec_id long, embedding array<double>, label {kind}"
+    )
+    got = pqdedup.near_duplicate_vectors(df).toPandas().sort_values("vec_id")
+    assert list(got["n_links"]) == links
+
+
 MESSAGES = [
     (1, 0, "user", "Hello there, how is the build?\n\nSecond para here."), (
         1, 1, "assistant", "> Hello there,  how IS the build?\n\nFine thanks."
@@ -618,8 +635,10 @@ def test_pipeline_keeps_columns_and_drops_repeated_rows(spark):
     ]
     own = spark.createDataFrame(base, SCHEMA).selectExpr(
         "*", "123 AS score", "7 AS predicted", "true AS toxic", "9 AS grade", "-5 AS size", "8 AS taken", "'n' AS node",
-        "4 AS id", "5 AS component_id",
+        "4 AS id", "5 AS component_id", "6 AS _id", "7 AS _node", "8 AS _first", "9 AS _place", "10 AS _near_id",
+        "true AS _corpus_toxic", "0 AS _corpus_predicted", "1 AS _mix_size", "1 AS _mix_taken", "1 AS _mix_first",
     )
+    theirs = ["_id", "_node", "_first", "_place", "_near_id", "_corpus_toxic", "_corpus_predicted", "_mix_size", "_mix_taken", "_mix_first"]
     kept = cp.drop_near_copies(spark, own, sf)
     want = [(0, base[0][1]), (1, base[1][1]), (5, None), (None, base[0][1]), (6, ""), (7, base[9][1])]
     assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want) and kept.columns == own.columns
@@ -630,10 +649,21 @@ def test_pipeline_keeps_columns_and_drops_repeated_rows(spark):
                 r["score"], r["predicted"], r["toxic"], r["grade"], r["size"], r["taken"], r["node"], r["id"]
             ) == (123, 7, True, 9, -5, 8, "n", 4) for r in out
         )
+        assert {tuple(r[c] for c in theirs) for r in out} == {(6, 7, 8, 9, 10, True, 0, 1, 1, 1)}
         assert stage(spark, own.filter("false"), sf).count() == 0
     assert cp.STAGES[4][1](spark, own, sf).count() == len(base)
 
 
+def test_which_of_repeated_rows_stays(spark):
+    words = "the same words again and again in one text"
+    rows_ = [(1, words.upper(), "a"), (1, words, "b"), (1, words, "a"), (1, f" {words}", "c")]
+    kept = set()
+    for order in (rows_, rows_[::-1], rows_[2:] + rows_[:2]):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        kept.add(tuple(tuple(r) for r in jaccard.drop_near_copies(df).collect()))
+    assert len(kept) == 1 and len(kept.pop()) == 1
+
+
 def test_pipeline_stages_against_their_operators(spark):
     import corpus_pipeline as cp
 

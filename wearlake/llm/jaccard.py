@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import connected_components, discard, materialise, release
+from wearlake.llm.runtime import connected_components, discard, materialise, own_prefix, release
 
 #: Kinds of rows of the postings.
 _PLAIN, _OFTEN, _TOLD, _ROWS = 0, 1, 2, 3
@@ -603,8 +603,8 @@ def jaccard_components(
     return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id")
 
 
-def _with_nodes(docs: DataFrame, n: int, text_col: str) -> DataFrame:
-    """docs with _node, the signature of the text's words (null without words)."""
+def _with_nodes(docs: DataFrame, n: int, text_col: str, name: str) -> DataFrame:
+    """docs with ``name``, the signature of the text's words (null without words)."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -615,11 +615,11 @@ def _with_nodes(docs: DataFrame, n: int, text_col: str) -> DataFrame:
                 nodes.append(_signatures(words, first))
                 empty.append(np.diff(first) == 0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, "_node"]
+                [*batch.columns, pa.array(np.concatenate(nodes), mask=np.concatenate(empty))], [*names, name]
             )
 
     return docs.mapInArrow(
-        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _node long"
+        run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{name}` long"
     )
 
 
@@ -629,24 +629,28 @@ def drop_near_copies(
     """One document of each component of ``jaccard_components`` that has words and ids: the row of the smallest id.
 
     Rows with a null id and rows without words stay as they are.  Of rows with
-    one id and the same words one stays.  All columns are kept.
+    one id and the same words (their case and blanks may differ) one stays: the
+    first by the hash of its text, then its text, then the hash of all its
+    columns.  All columns are kept, whatever their names.
     """
     rows = materialise(_classified(docs, n, percent, 1024, 4, 3, id_col, text_col), "rows")
+    names = [f"`{c}`" for c in docs.columns]
+    own = own_prefix(docs.columns, "_near_")
+    named, node, first, place = (f"{own}{c}" for c in ("id", "node", "first", "place"))
     known = rows.filter("id is not null")
-    gone = known.filter("id <> component_id").select(F.col("id").alias("_id")).distinct()
+    gone = known.filter("id <> component_id").select(F.col("id").alias(named)).distinct()
     if known.groupBy("id").count().filter("count > 1").isEmpty():
-        return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+        return docs.join(gone, F.col(id_col) == F.col(named), "left_anti")
     # ids occur several times: a row is told by its id and its words
     firsts = known.filter("node is not null and id = component_id").groupBy("component_id").agg(F.min(F.struct("id", "node")).alias("first")).select(
-        F.col("first.id").alias("_id"), F.col("first.node").alias("_first")
+        F.col("first.id").alias(named), F.col("first.node").alias(first)
     )
-    tagged = _with_nodes(docs, n, text_col)
-    apart = F.col(id_col).isNull() | F.col("_node").isNull()
-    kept = tagged.filter(~apart).join(firsts, (F.col(id_col) == F.col("_id")) & (F.col("_node") == F.col("_first")))
-    kept = kept.withColumn(
-        "_place", F.row_number().over(Window.partitionBy("_id", "_first").orderBy(F.lit(0)))
-    ).filter("_place = 1")
-    return kept.select(*docs.columns).unionByName(tagged.filter(apart).select(*docs.columns))
+    tagged = _with_nodes(docs, n, text_col, node)
+    apart = F.col(id_col).isNull() | F.col(node).isNull()
+    kept = tagged.filter(~apart).join(firsts, (F.col(id_col) == F.col(named)) & (F.col(node) == F.col(first)))
+    order = (F.xxhash64(text_col), F.col(text_col), F.xxhash64(F.to_json(F.struct(*names))))
+    kept = kept.withColumn(place, F.row_number().over(Window.partitionBy(named, first).orderBy(*order)))
+    return kept.filter(F.col(place) == 1).select(*names).unionByName(tagged.filter(apart).select(*names))
 
 
 def _all_links(spark: SparkSession, found: list[DataFrame]) -> DataFrame:

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.llm.runtime import materialise
+from wearlake.llm.runtime import materialise, own_prefix
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -126,14 +126,15 @@ def mixed_documents(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     white space between them; n_chars, where there is one, follows it.
     """
     names = docs.columns
-    rows = mix(docs, keep=True, seed=seed, prefix="_mix_")
-    taken, size, first = F.col("_mix_taken"), F.col("_mix_size"), F.col("_mix_first")
+    own = own_prefix(names, "_mix_")
+    rows = mix(docs, keep=True, seed=seed, prefix=own)
+    taken, size, first = F.col(f"{own}taken"), F.col(f"{own}size"), F.col(f"{own}first")
     part = taken % size
     copies = F.concat(
         F.array_repeat(F.lit(0).cast("long"), F.floor(taken / size).cast("int")),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<bigint>")),
     )
-    rows = rows.filter(taken > 0).withColumn("_mix_first", F.explode(copies))
+    rows = rows.filter(taken > 0).withColumn(f"{own}first", F.explode(copies))
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.when(first > 0, F.array_join(F.slice(pieces, F.lit(1), first.cast("int")), "")).otherwise(F.col("text"))
     rows = rows.withColumn("text", cut)
@@ -142,4 +143,4 @@ def mixed_documents(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
             "n_chars",
             F.when(first > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")),
         )
-    return rows.select(*names)
+    return rows.select(*(f"`{c}`" for c in names))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearlake.llm.pqdedup import k_means
-from wearlake.llm.runtime import discard, materialise
+from wearlake.llm.runtime import discard, materialise, value_text
 
 #: Vectors of this norm or more might have scores that are no long.
 _MOST_NORM = float(1 << 31)
@@ -79,12 +79,6 @@ def fit_codebooks(sample: np.ndarray, subspaces: int = 8, codes: int = 256, roun
 
 def whole_rows(vectors: DataFrame, scale: float, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """(row, id, label, width, x) of rows that take part: x has floor(scale * c) as little-endian longs, label is text."""
-    kind = vectors.schema[label_col].dataType.typeName()
-    label = F.col(label_col)
-    if kind in ("float", "double"):
-        label = label + F.lit(0).cast(kind)  # -0.0 is 0.0
-    label = F.to_json(F.struct(label)) if kind in ("struct", "array", "map", "variant") else label.cast("string")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, widths, out = [], [], []
@@ -103,7 +97,7 @@ def whole_rows(vectors: DataFrame, scale: float, id_col: str, vec_col: str, labe
             )
 
     own = vectors.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), label.alias("label"),
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), value_text(vectors, label_col).alias("label"),
         F.col(vec_col).alias("x"),
     ).filter("label is not null and x is not null")
     return own.mapInArrow(run, "row long, id long, label string, width int, x binary")

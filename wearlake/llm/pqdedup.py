@@ -18,14 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import connected_components, discard, materialise
+from wearlake.llm.runtime import connected_components, discard, materialise, value_text
 
 
 @dataclass
@@ -105,10 +105,7 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
                     x / np.abs(x).max()
                 ) if x is not None and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0 else 0.0
                 if norm:
-                    raw = np.frombuffer(x.tobytes() + int(label).to_bytes(8, "little", signed=True), np.uint8)
-                    nodes.append(
-                        int(tv.span_hashes(raw, np.zeros(1, np.int64), np.array([len(raw)]))[0] >> np.uint64(1))
-                    )
+                    nodes.append(md5(x.tobytes() + label.encode()).hexdigest())
                     units.append((x / np.abs(x).max() / norm).tobytes())
                     widths.append(len(x))
                 else:
@@ -117,14 +114,14 @@ def _nodes(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> Dat
                     widths.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(nodes, pa.int64()), batch.column(2), pa.array(widths, pa.int32()),
+                    batch.column(0), pa.array(nodes, pa.string()), batch.column(2), pa.array(widths, pa.int32()),
                     pa.array(units, pa.binary()),
                 ], ["vec_id", "node", "label", "width", "unit"]
             )
 
     return vectors.select(
-        F.col(id_col).try_cast("long"), vec_col, F.col(label_col).try_cast("long")
-    ).mapInArrow(run, "vec_id long, node long, label long, width int, unit binary")
+        F.col(id_col).try_cast("long"), vec_col, value_text(vectors, label_col).alias("label")
+    ).mapInArrow(run, "vec_id long, node string, label string, width int, unit binary")
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -157,10 +154,11 @@ def near_duplicate_vectors(
 
     Vectors with equal labels and widths link at a cosine of ``cosine`` or more.
     Null or zero vectors, vectors with null or non-finite components and those
-    without a label link with nothing and are their own component.  Ids and
-    labels are whole numbers; text is read as such where it is one, and any
-    other label is none.  Equal vectors link.  n_links counts other rows; component_id is the smallest
-    vec_id reachable; kept is vec_id = component_id.  Repeated rows count as
+    without a label link with nothing and are their own component.  Labels are
+    equal by value (of whatever type the column is); ids are whole numbers, and
+    text is read as such where it is one.  Equal vectors link; they are told by
+    128 bits of vector and label.  n_links counts other rows; component_id is the
+    smallest vec_id reachable; kept is vec_id = component_id.  Repeated rows count as
     rows; other columns are left out; an empty table gives an empty result.
 
     The quantiser is fitted on ``sample_rows`` vectors at most, with the square
@@ -202,7 +200,7 @@ def near_duplicate_vectors(
     coded = materialise(
         nodes.select("node", "copies", "label", "width", "unit").mapInArrow(
             code,
-            "node long, copies long, label long, width int, unit binary, home int, probes array<int>, codes binary, error double",
+            "node string, copies long, label string, width int, unit binary, home int, probes array<int>, codes binary, error double",
         ),
         "coded",
     )
@@ -226,8 +224,10 @@ def near_duplicate_vectors(
         role = table.column("role").to_numpy()
         at_list = table.column("list")[0].as_py()
         get = lambda name, r: table.column(name).combine_chunks().filter(pa.array(role == r))
-        q_node, m_node = get("node", 0).to_numpy(), get("node", 1).to_numpy()
-        nothing = pa.table([pa.array([], pa.int64())] * 3, names=["node", "links", "least"])
+        digits = lambda r: np.array(get("node", r).to_pylist(), "S32")
+        q_node, m_node = digits(0), digits(1)
+        text = lambda x: pa.array(x.astype("U32").tolist(), pa.string())
+        nothing = pa.table([pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.string())], names=["node", "links", "least"])
         if not len(q_node) or not len(m_node):
             return nothing
         x, y = _matrix(get("unit", 0), dim), _matrix(get("unit", 1), dim)
@@ -260,12 +260,12 @@ def near_duplicate_vectors(
         links = np.bincount(vertex, np.concatenate((q_links, m_links)), minlength=len(name)).astype(np.int64)
         touched = np.unique(np.concatenate((vertex[a], vertex[len(x) + b])))
         return pa.table(
-            [pa.array(name[touched]), pa.array(links[touched]), pa.array(least[touched])],
+            [text(name[touched]), pa.array(links[touched]), text(least[touched])],
             names=["node", "links", "least"],
         )
 
     found = asked.select(*columns).union(held.select(*columns)).groupBy(*where, "q", "m").applyInArrow(
-        link, "node long, links long, least long"
+        link, "node string, links long, least string"
     )
     found = materialise(found, "vector-links")
     discard(coded)

@@ -6,7 +6,7 @@ import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def own_prefix(names: list[str], wish: str) -> str:
+    """A prefix like ``wish`` that no name starts with, in any case of its letters."""
+    while any(n.lower().startswith(wish.lower()) for n in names):
+        wish = f"_{wish}"
+    return wish
+
+
+def value_text(df: DataFrame, name: str) -> Column:
+    """A column's values as text that is equal just where the values are; null stays null."""
+    kind = df.schema[name].dataType.typeName()
+    value = F.col(f"`{name}`")
+    if kind in ("float", "double"):
+        value = value + F.lit(0).cast(kind)  # -0.0 is 0.0
+    if kind in ("struct", "array", "map", "variant"):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return F.hex(value) if kind == "binary" else value.cast("string")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame into the shared folder and read it back.
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.llm.runtime import materialise
+from wearlake.llm.runtime import materialise, own_prefix
 
 #: Hexadecimal digits of a draw's hash: 52 bits, exact in a double.
 _DIGITS = 13
@@ -122,22 +122,24 @@ def slots(rows: DataFrame, group: str, order: Sequence[str], name: str = "slot")
     Rows that are equal in all of ``order`` are numbered in the order in which
     the table was read, so however many they are they lie in many tasks.
     """
-    tie, place, part = "_slot_tie", "_slot_place", "_slot_part"
+    own = own_prefix(rows.columns, "_slot_")
+    tie, place, part, least, count = (f"{own}{c}" for c in ("tie", "place", "part", "first", "rows"))
+    b_part, b_group, b_base = (f"{own}{c}" for c in ("b_part", "b_group", "b_base"))
     read = materialise(rows.withColumn(tie, F.monotonically_increasing_id()), "unsorted")
     keys = [group, *order, tie]
     dealt = read.repartitionByRange(*keys).sortWithinPartitions(*keys)
     written = materialise(dealt.withColumn(place, F.monotonically_increasing_id()), "sorted")
     written = written.withColumn(part, F.shiftright(place, 33))
     # a row per part and group; only their sums pass the window
-    held = written.groupBy(part, group).agg(F.min(place).alias("_slot_first"), F.count("*").alias("_slot_rows"))
-    before = F.sum("_slot_rows").over(Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    held = written.groupBy(part, group).agg(F.min(place).alias(least), F.count("*").alias(count))
+    before = F.sum(count).over(Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
     base = held.select(
-        F.col(part).alias("_b_part"), F.col(group).alias("_b_group"),
-        (F.coalesce(before, F.lit(0)) - F.col("_slot_first")).alias("_b_base"),
+        F.col(part).alias(b_part), F.col(group).alias(b_group),
+        (F.coalesce(before, F.lit(0)) - F.col(least)).alias(b_base),
     )
-    joined = written.join(base, (F.col(part) == F.col("_b_part")) & F.col(group).eqNullSafe(F.col("_b_group")))
-    return joined.withColumn(name, (F.col(place) + F.col("_b_base")).cast("long")).drop(
-        tie, place, part, "_b_part", "_b_group", "_b_base"
+    joined = written.join(base, (F.col(part) == F.col(b_part)) & F.col(group).eqNullSafe(F.col(b_group)))
+    return joined.withColumn(name, (F.col(place) + F.col(b_base)).cast("long")).drop(
+        tie, place, part, b_part, b_group, b_base
     )
 
 
@@ -172,5 +174,6 @@ def write_shards(docs: DataFrame, path: str, tree: Node, rows_per_file: int = 10
     rows is written by many; a file has ``rows_per_file`` rows at most.  An
     input column named shard is replaced.
     """
-    dealt = with_shard(docs, tree, id_col).withColumn("_salt", F.floor(F.rand(3) * 64))
-    dealt.repartition("shard", "_salt").drop("_salt").write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)
+    salt = own_prefix(docs.columns, "_salt")
+    dealt = with_shard(docs, tree, id_col).withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(64)))
+    dealt.repartition("shard", salt).drop(salt).write.option("maxRecordsPerFile", rows_per_file).partitionBy("shard").parquet(path)
