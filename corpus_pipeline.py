@@ -11,11 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wearlake.llm import jaccard, mixing, packing, quality, toxicity
 from wearlake.llm.queries import TOKENIZER
-from wearlake.llm.runtime import discard, materialise
-
-#: Results of the classifiers have names with this prefix until they are dropped, so that no column of documents is lost.
-OWN = "_corpus_"
-
+from wearlake.llm.runtime import discard, materialise, own_prefix
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -28,13 +24,17 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of any toxic grade is below one half."""
     model = toxicity.fit_toxicity(_documents(spark, sf_dir), _labels(spark, sf_dir))
-    return toxicity.score_toxicity(docs, model, keep=True, prefix=OWN).filter(f"not {OWN}toxic").select(*docs.columns)
+    own = own_prefix(docs.columns, "_corpus_")  # so that no column of documents is lost
+    scored = toxicity.score_toxicity(docs, model, keep=True, prefix=own).filter(f"not {own}toxic")
+    return scored.select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is one half or more."""
     model = quality.fit_quality(_documents(spark, sf_dir), _labels(spark, sf_dir))
-    return quality.score_quality(docs, model, keep=True, prefix=OWN).filter(f"{OWN}predicted = 1").select(*docs.columns)
+    own = own_prefix(docs.columns, "_corpus_")
+    scored = quality.score_quality(docs, model, keep=True, prefix=own).filter(f"{own}predicted = 1")
+    return scored.select(*(f"`{c}`" for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
