@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.functions import geo
-from wearlake.operators import folds, intervals, series
+from wearlake.operators import flow, folds, intervals, series
 
 ACCEL, GYRO = ("accel_x", "accel_y", "accel_z"), ("gyro_x", "gyro_y", "gyro_z")
 
@@ -114,6 +114,13 @@ def flow_segments(
     return found.unionByName(lone)
 
 
+def video_segments(
+    frames: DataFrame, high: float = 3.0, low: float = 1.0, least: int = 15, part: str = "session", i: str = "frame"
+) -> DataFrame:
+    """Action segments of frames as bytes: tracked corners give each frame's magnitude, these the segments."""
+    return flow_segments(flow.magnitudes(frames, part, i), high, low, least, part, i, "magnitude")
+
+
 def gps_stage(
     fixes: DataFrame, fps: float = 30.0, part: str = "session", t: str = "t", tie: str | None = None
 ) -> DataFrame:

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wearlake.operators import flow
+
 BLOCKS, DIMENSIONS = 8, 512
 
 
@@ -69,6 +72,57 @@ def to_rgb(frames: DataFrame) -> DataFrame:
     )
 
 
+def blurred(x: np.ndarray, boxes: list, kernel: int = 99) -> np.ndarray:
+    """A copy of an image (bytes, with channels) whose boxes (x, y, w, h) are blurred by a Gaussian of an odd size, each
+    from its own pixels; parts of a box outside the image don't count."""
+    size = kernel | 1
+    g = flow.gaussian(size, 0.3 * ((size - 1) * 0.5 - 1) + 0.8)
+    out = x.copy()
+    for left, top, wide, high in boxes:
+        rows, columns = slice(max(0, top), max(0, top + high)), slice(max(0, left), max(0, left + wide))
+        part = out[rows, columns].astype(np.float64)
+        if part.size:
+            for c in range(part.shape[2]):
+                part[:, :, c] = flow.separable(part[:, :, c], g, g)
+            out[rows, columns] = np.clip(np.rint(part), 0, 255).astype(np.uint8)
+    return out
+
+
+def video_stage(
+    frames: DataFrame, width: int = 224, height: int = 224, boxes: str | None = None, kernel: int = 99
+) -> DataFrame:
+    """frames (image, height, width, channels) with ``pixels``: boxes blurred, resized, channels turned round, in [0, 1].
+
+    ``boxes`` names a column of faces, an array of (x, y, w, h); the detector is the caller's.  ``image``, ``height``
+    and ``width`` become those of the resized frame.  An image that is null or lacks bytes has null pixels and stays.
+    One frame is worked through at a time.
+    """
+    names = frames.columns
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                get = lambda c: row.column(names.index(c))[0].as_py()  # noqa: E731, B023
+                raw, h, w, c = get("image"), get("height"), get("width"), get("channels")
+                pixels = None
+                if raw is not None and len(raw) and len(raw) == h * w * c:
+                    x = np.frombuffer(raw, np.uint8).reshape(h, w, c)
+                    held = get(boxes) if boxes else None
+                    if held:
+                        x = blurred(x, [(b["x"], b["y"], b["w"], b["h"]) for b in held], kernel)
+                    x = np.clip(np.rint(flow.resized(x, height, width)), 0, 255).astype(np.uint8)
+                    raw, h, w, pixels = x.tobytes(), height, width, (x[:, :, ::-1].reshape(-1) / np.float32(255)).astype(np.float32)
+                new = {"image": raw, "height": h, "width": w}
+                columns = [
+                    pa.array([new[n]], row.column(j).type) if n in new else row.column(j) for j, n in enumerate(names)
+                ]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([pixels], pa.list_(pa.float32()))], [*names, "pixels"])
+
+    return frames.mapInArrow(run, f"{kinds}, pixels array<float>")
+
+
 def masked_mean(vectors: Column, mask: Column) -> Column:
     """The mean of the vectors of an array whose mask is 1; zeros if there is none."""
     pairs = F.arrays_zip(vectors.alias("v"), mask.alias("m"))
