@@ -23,7 +23,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from wearlake import queries, stage_queries, video_queries  # noqa: F401  (they register their queries)
+    from wearlake import index_queries, queries, stage_queries, video_queries  # noqa: F401  (they register their queries)
 
 
 def queries() -> dict[str, Query]:
