@@ -191,3 +191,71 @@ def test_uploads_of_a_small_queue(spark):
     ] == [5] and ingest.pending_count(after).first()["queued"] == 0
     assert tuple(ingest.upload_stats(after).first())[1:] == (0, 2, 2)
     assert after.filter(F.col("status") == "uploading").count() == 1
+
+
+def record(chunk, kind, attempt, second, session="a"):
+    return {"session_id": session, "chunk_index": chunk, "kind": kind, "attempt": attempt, "at": f"2024-01-01T00:{int(second) // 60:02d}:{second % 60:06.3f}Z"}
+
+
+def told(found):
+    """(chunk, attempt, status, second) of transitions."""
+    return sorted((r["chunk_index"], r["attempt"], r["status"], r["at"].minute * 60 + r["at"].second + r["at"].microsecond / 1e6) for r in found if r["chunk_index"] < 90)
+
+
+RECORDS = [
+    record(1, "queued", 0, 0), record(1, "ok", 1, 1),
+    record(2, "queued", 0, 0), record(2, "error", 1, 1), record(2, "ok", 2, 4),
+    record(3, "queued", 0, 0), record(3, "error", 1, 1), record(3, "error", 2, 4), record(3, "error", 3, 9),
+    record(3, "ok", 3, 12),  # of an attempt that is over
+    record(3, "queued", 0, 20), record(1, "queued", 0, 21),  # known: nothing
+    record(4, "queued", 0, 5),  # nothing is heard of it
+    record(5, "ok", 1, 6),  # never queued
+]
+WANT = [
+    (1, 1, "done", 1), (1, 1, "uploading", 0), (2, 1, "uploading", 0), (2, 2, "done", 4), (2, 2, "uploading", 3),
+    (3, 1, "uploading", 0), (3, 2, "uploading", 3), (3, 3, "failed", 17), (3, 3, "uploading", 8),
+    (4, 1, "uploading", 5), (4, 2, "uploading", 37), (4, 3, "failed", 109), (4, 3, "uploading", 71),
+]
+
+
+def test_uploads_in_a_batch(spark):
+    from wearlake.streaming import uploads
+
+    rows = pd.DataFrame(RECORDS + [record(1, "nonsense", 1, 0.5)])
+    rows["at"] = pd.to_datetime(rows["at"]).dt.tz_localize(None)
+    df = spark.createDataFrame(rows, uploads.RECORD)
+    assert told(uploads.settled(df.unionByName(df), patience=30.0).collect()) == WANT
+    last = {r.chunk_index: (r.status, r.attempt) for r in uploads.latest_status(uploads.settled(df, patience=30.0)).collect()}
+    assert last == {1: ("done", 1), 2: ("done", 2), 3: ("failed", 3), 4: ("failed", 3)}
+
+
+@pytest.mark.parametrize("cuts", [(), (3, 5, 8, 10), tuple(range(1, 14))])
+def test_a_replay_of_uploads_equals_the_batch(spark, tmp_path, cuts):
+    """However the stream is cut, each part in a query started anew: the same transitions, each once."""
+    from wearlake.streaming import uploads
+
+    feed = Feed(spark, tmp_path, lambda s: uploads.uploads(s, late="30 seconds", patience=30.0), uploads.RECORD)
+    ends = [0, *cuts, len(RECORDS)]
+    by_time = sorted(RECORDS, key=lambda r: r["at"])
+    for a, b in zip(ends, ends[1:]):
+        feed.put(by_time[a:b])
+        feed.drain()
+    for minute in (3, 4, 5):  # later records of another chunk carry the watermark on
+        feed.put([record(99, "queued", 0, minute * 60)])
+        feed.drain()
+    assert told(feed.seen) == WANT
+
+
+def test_ended_uploads_are_forgotten_in_time(spark, tmp_path):
+    from wearlake.streaming import uploads
+
+    feed = Feed(spark, tmp_path, lambda s: uploads.uploads(s, late="1 second", keep=60.0), uploads.RECORD)
+    feed.put([record(1, "queued", 0, 0), record(1, "ok", 1, 1)])
+    feed.drain()
+    feed.put([record(1, "queued", 0, 30)])
+    feed.drain()
+    feed.put([record(99, "queued", 0, 100)])
+    feed.drain()
+    feed.put([record(1, "queued", 0, 130)])
+    feed.drain()
+    assert [(n, s) for _, n, s, _ in told(feed.seen)] == [(1, "done"), (1, "uploading"), (1, "uploading")]

@@ -10,7 +10,7 @@ from wearlake.operators import assembly, catalog, composites, episodes, images,
 from wearlake.plans import standins as st
 from wearlake.queries import _ACTION, _HYST, _SCENARIO, MOTION
 from wearlake.registry import query, r6
-from wearlake.streaming import ingest
+from wearlake.streaming import ingest, uploads
 
 _STOPS = f"""WITH {st.SENSOR}, {MOTION}, a AS (SELECT *, speed_kmh < 2 AS slow FROM motion),
 b AS (SELECT *, CASE WHEN slow <> lag(slow) OVER w THEN 1 ELSE 0 END AS turned FROM a WINDOW w AS (PARTITION BY session ORDER BY t, event_id)),
@@ -422,3 +422,27 @@ def image_embedding(spark, d):
 def motion_levels(spark, d):
     level, sure = tx.motion_level(F.col("magnitude") * 3, F.lit(10))
     return st.frames(spark, d).select("session", "frame", level.alias("level"), sure.alias("sure"))
+
+
+_ATTEMPTS = f"""WITH {st.CHUNKS}, k AS (SELECT session, chunk, floor(start_time * 1000)::BIGINT AS t, (session + chunk) % 5 AS bad FROM c)"""
+
+
+@query(_ATTEMPTS + """SELECT 'u' || session AS session_id, (chunk % 1000000)::INT AS chunk_index, CASE WHEN bad >= 3 THEN 'failed' ELSE 'done' END AS status, least(bad + 1, 3)::INT AS attempt,
+t + CASE bad WHEN 0 THEN 500 WHEN 1 THEN 3000 WHEN 2 THEN 7500 ELSE 15500 END AS at_ms FROM k""")
+def upload_outcomes(spark, d):
+    """Uploads of all chunks, of which (session + chunk) % 5 attempts fail, each after half a second."""
+    c = st.chunks(spark, d).withColumn("bad", (F.col("session") + F.col("chunk")) % 5)
+    start = F.floor(F.col("start_time") * 1000)
+    own = F.struct(F.lit("queued").alias("kind"), F.lit(0).alias("attempt"), start.alias("ms"))
+    at = {1: 500, 2: 3000, 3: 7500}  # what is heard of each attempt, after its waits
+    told = [
+        F.when(F.col("bad") >= n - 1, F.struct(F.when(F.col("bad") >= n, "error").otherwise("ok").alias("kind"), F.lit(n).alias("attempt"), (start + ms).alias("ms")))
+        for n, ms in at.items()
+    ]
+    records = c.select(
+        F.concat(F.lit("u"), F.col("session").cast("string")).alias("session_id"), (F.col("chunk") % 1_000_000).cast("int").alias("chunk_index"),
+        F.explode(F.array_compact(F.array(own, *told))).alias("r"),
+    ).select("session_id", "chunk_index", "r.kind", "r.attempt", F.timestamp_millis("r.ms").alias("at"))
+    return uploads.latest_status(uploads.settled(records)).select(
+        "session_id", "chunk_index", "status", "attempt", F.unix_millis("at").alias("at_ms")
+    )
