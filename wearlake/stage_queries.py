@@ -9,7 +9,9 @@ from wearlake.functions import text as tx
 from wearlake.operators import assembly, catalog, composites, episodes, images, labeling, series, transcripts
 from wearlake.plans import standins as st
 from wearlake.queries import _ACTION, _HYST, _SCENARIO, MOTION
-from wearlake.registry import query, r6
+from wearlake.registry import _SQL, query, r6
+from wearlake.sources import pages
+from wearlake.sources.scratch import scratch_path
 from wearlake.streaming import ingest, uploads
 
 _STOPS = f"""WITH {st.SENSOR}, {MOTION}, a AS (SELECT *, speed_kmh < 2 AS slow FROM motion),
@@ -257,6 +259,16 @@ def pull_annotations(spark, d):
     )
 
 
+@query(_SQL["pull_annotations"])
+def paged_annotations(spark, d):
+    """The same, read back from pages of 100 tasks through the paged source."""
+    path = scratch_path(spark, "tasks")
+    pages.write_pages(_tasks(spark, d), path)
+    return labeling.pull_annotations(pages.read_tasks(spark, path)).select(
+        "task_id", "session_id", "segment_index", "start_frame", "place", "annotation", "annotator"
+    )
+
+
 def _index(spark, d) -> DataFrame:
     return labeling.annotation_index(labeling.pull_annotations(_tasks(spark, d)), ["task_id", "place"])
 
