@@ -259,3 +259,19 @@ def test_ended_uploads_are_forgotten_in_time(spark, tmp_path):
     feed.put([record(1, "queued", 0, 130)])
     feed.drain()
     assert [(n, s) for _, n, s, _ in told(feed.seen)] == [(1, "done"), (1, "uploading"), (1, "uploading")]
+
+
+def test_a_batch_is_appended_once(spark, tmp_path, monkeypatch):
+    """Two samples of one time stay, a replay adds nothing, half a batch doesn't count and is mended by the replay."""
+    from wearlake.sources import writers
+
+    path = f"{tmp_path}/imu"
+    one = spark.createDataFrame([(1.0, 5.0), (1.0, 6.0), (2.0, 7.0)], "timestamp double, accel_x double")
+    assert writers.append_batch(one, path, 0) and not writers.append_batch(one, path, 0)
+    two = spark.createDataFrame([(3.0, 8.0)], "timestamp double, accel_x double")
+    two.write.parquet(f"{path}/data/batch=1")  # the crash came before the log
+    rows = lambda: sorted((r.timestamp, r.accel_x) for r in writers.read_appended(spark, path).collect())
+    assert rows() == [(1.0, 5.0), (1.0, 6.0), (2.0, 7.0)]
+    assert writers.append_batch(two, path, 1) and rows()[-1] == (3.0, 8.0) and len(rows()) == 4
+    monkeypatch.setattr(spark.__class__, "read", property(lambda self: pytest.fail("the history is read")))
+    assert writers.append_batch(two, path, 2)

@@ -46,6 +46,34 @@ def append_imu(new: DataFrame, path: str, key: tuple[str, ...] = ("timestamp",))
     new.write.mode("append").parquet(path)
 
 
+def append_batch(rows: DataFrame, path: str, number: int) -> bool:
+    """Append a batch of a stream (as foreachBatch hands it over) once: whether it was new.
+
+    A batch has a folder of its own and, when that is whole, an entry in the log beside it; a batch that is in the log
+    is left alone, one that isn't is written over.  So a batch sent again, after a crash too, costs its own size and
+    adds nothing, no history is read, and all rows of a batch stay, also those of one time.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    entry = jvm.org.apache.hadoop.fs.Path(f"{path}/log/{int(number)}")
+    fs = entry.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(entry):
+        return False
+    rows.write.mode("overwrite").parquet(f"{path}/data/batch={int(number)}")
+    fs.mkdirs(entry.getParent())
+    fs.create(entry, True).close()
+    return True
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches that are in the log, with the column ``batch``; of others there may be parts, which don't count."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    names = [s.getPath().getName() for s in folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)]
+    known = spark.createDataFrame([(int(n),) for n in names if n.isdigit()], "batch int")
+    return spark.read.parquet(f"{path}/data").withColumn("batch", F.col("batch").cast("int")).join(known, "batch", "left_semi")
+
+
 def write_wav(audio: DataFrame, folder: str) -> DataFrame:
     """16-bit WAV files of (name, rate, samples) in a folder that all machines share; returns (name, path, bytes)."""
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.functions import text as tx
-from wearlake.operators import assembly, catalog, composites, episodes, images, labeling, series, transcripts
+from wearlake.operators import assembly, catalog, composites, episodes, images, labeling, series, training, transcripts
 from wearlake.plans import standins as st
 from wearlake.queries import _ACTION, _HYST, _SCENARIO, MOTION
 from wearlake.registry import _SQL, query, r6
@@ -458,3 +458,18 @@ def upload_outcomes(spark, d):
     return uploads.latest_status(uploads.settled(records)).select(
         "session_id", "chunk_index", "status", "attempt", F.unix_millis("at").alias("at_ms")
     )
+
+
+@query()
+def training_curve(spark, d):
+    """Losses of a small policy, from the payload of all frames (six inertial channels and two of GPS) to the 7 actions."""
+    f = st.frames(spark, d)
+    imu = f.select("session", "frame", F.array("value", "speed", "lat", "lon", "value", "magnitude").alias("values"))
+    gps = f.select("session", "frame", F.array("lat", "lon").alias("values"))
+    rows = episodes.frame_payload(f.select("session", "frame"), imu, gps, None, 2).select(
+        "session", "frame", F.concat(F.slice("imu", 1, 6), F.slice("gps", 1, 2)).alias("features"), F.col("action").alias("actions")
+    )
+    path = scratch_path(spark, "mini-batches")
+    training.deal(rows, path, 4, ["session", "frame"])
+    run = training.train(spark, path, scratch_path(spark, "checkpoints"), epochs=4, rate=0.02, warmup=2, hidden=16)
+    return run.table(spark).select("epoch", *r6("lr"), *(F.round(c, 5).alias(c) for c in ("train_loss", "val_loss")))
