@@ -573,3 +573,34 @@ def test_jobs(spark):
     assert (
         got["j"]["status"], got["j"]["error"], got["j"]["updated_at"], got["j"]["stage"]
     ) == ("failed", "down", 5, "queued") and got["k"]["updated_at"] == 1 and len(got) == 2
+
+
+def test_high_pass_in_blocks(spark):
+    """A series in many blocks as in one; short series, blocks of one row and equal times included."""
+    rng = np.random.default_rng(11)
+    rows = [("a", k, k * 0.01, 9.8 + float(x), float(y)) for k, (x, y) in enumerate(rng.normal(size=(501, 2)))]
+    rows += [("b", k, k * 0.01, float(k), 1.0) for k in range(9)] + [("c", k, float(k // 3), float(x), 2.0) for k, x in enumerate(rng.normal(size=33))]
+    df = frame(spark, rows, "session string, n long, t double, ax double, ay double").repartition(5)
+    for size, block in ((16, 0.5), (64, 3600.0), (65_536, 1.0)):
+        got = folds.remove_gravity(df, ["ax", "ay"], tie="n", size=size, block=block).toPandas().sort_values(["session", "n"])
+        assert len(got) == len(rows)
+        for s, part in got.groupby("session"):
+            for c in ("ax", "ay"):
+                own = np.array([r[3 if c == "ax" else 4] for r in rows if r[0] == s])
+                want = high_pass_by_equations(own, 100.0) if len(own) > 9 else own
+                assert np.allclose(part[f"{c}_hp"], want, atol=1e-9), (s, c, size)
+    assert abs(got[got.session == "a"].ax_hp.mean()) < 1
+    assert folds.remove_gravity(df.filter("false"), ["ax"]).count() == 0
+
+
+def test_resample_in_blocks(spark):
+    rng = np.random.default_rng(12)
+    for rate, to, sizes in ((48_000, 16_000, (40, 64)), (16_000, 48_000, (40,)), (44_100, 16_000, (700,)), (8_000, 8_000, (5,))):
+        rows = {s: rng.normal(size=n) for s, n in (("a", 1501), ("b", 3), ("c", sizes[0] * 2))}
+        for size in sizes:
+            blocks = [(s, k // size, x[k : k + size].tolist(), rate) for s, x in rows.items() for k in range(0, len(x), size)]
+            got = folds.resample_blocks(frame(spark, blocks, "session string, block long, samples array<double>, rate int"), to).collect()
+            for s, x in rows.items():
+                parts = sorted((r["first"], r["samples"]) for r in got if r["session"] == s and r["samples"])
+                assert [f for f, _ in parts] == np.concatenate(([0], np.cumsum([len(v) for _, v in parts])[:-1])).tolist()
+                assert np.allclose(np.concatenate([v for _, v in parts]), folds.resample(x, rate, to), atol=1e-9), (rate, s)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wearlake.operators import series
+
 
 Step = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -140,42 +142,158 @@ def orientation(
     return carried(df, list(gyro), ["qx", "qy", "qz", "qw"], 4, step, part, t, tie)
 
 
-def high_pass(x: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:
-    """Zero-phase second-order Butterworth high-pass with odd extension by 9; 9 samples or fewer stay as they are."""
-    if len(x) <= 9:
-        return x.copy()
+class SecondOrder:
+    """A recursive filter of second order whose state is two numbers, so that a block is an affine map of the state."""
+
+    def __init__(self, b: np.ndarray, a: np.ndarray):
+        self.b, self.a = b, a
+        self.matrix = np.array([[-a[0], 1.0], [-a[1], 0.0]])
+        self.gain = np.array([b[1] - a[0] * b[0], b[2] - a[1] * b[0]])
+
+    def power(self, n: int) -> np.ndarray:
+        """The linear part of the map of n samples."""
+        return np.linalg.matrix_power(self.matrix, n)
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(outputs, state after); pieces of the samples go in lockstep from no state, then each gets its own."""
+        n = len(x)
+        size = max(1, math.isqrt(n))
+        count = n // size
+        pieces = x[: count * size].reshape(count, size)
+        z, out = np.zeros((count, 2)), np.empty((count, size))
+        for k in range(size):
+            v = pieces[:, k]
+            out[:, k] = self.b[0] * v + z[:, 0]
+            z = z @ self.matrix.T + v[:, None] * self.gain
+        through, answer = self.power(size), np.empty((size, 2))
+        row = np.array([1.0, 0.0])
+        for k in range(size):
+            answer[k] = row
+            row = row @ self.matrix
+        starts = np.empty((count, 2))
+        for k in range(count):
+            starts[k] = state
+            state = through @ state + z[k]
+        made = [(out + starts @ answer.T).ravel()]
+        rest = np.empty(n - count * size)
+        for k, v in enumerate(x[count * size :]):
+            rest[k] = self.b[0] * v + state[0]
+            state = self.matrix @ state + v * self.gain
+        return np.concatenate([*made, rest]), state
+
+
+#: Samples by which a series is continued at both ends, turned round.
+PAD = 9
+
+
+def high_pass_filter(rate: float, cut: float = 0.5) -> tuple[SecondOrder, np.ndarray]:
+    """A second-order Butterworth high-pass, and its state after a constant 1 for ever."""
     k = math.tan(math.pi * min(cut / (rate / 2), 0.99) / 2)
     n = 1 / (1 + math.sqrt(2) * k + k * k)
     b, a = np.array([n, -2 * n, n]), np.array([2 * (k * k - 1) * n, (1 - math.sqrt(2) * k + k * k) * n])
-    state = np.array([-b[0], b[0]])  # steady state for a constant input: a high-pass forgets it
-
-    def once(s: np.ndarray) -> np.ndarray:
-        z1, z2 = state * s[0]
-        out = np.empty_like(s)
-        for i, v in enumerate(s):
-            out[i] = b[0] * v + z1
-            z1, z2 = b[1] * v - a[0] * out[i] + z2, b[2] * v - a[1] * out[i]
-        return out
+    return SecondOrder(b, a), np.array([-b[0], b[0]])
+
 
-    wide = np.concatenate((2 * x[0] - x[9:0:-1], x, 2 * x[-1] - x[-2:-11:-1]))
-    return once(once(wide)[::-1])[::-1][9:-9]
+def high_pass(x: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:
+    """Zero-phase high-pass with odd extension by PAD samples; that many or fewer samples stay as they are."""
+    if len(x) <= PAD:
+        return x.copy()
+    filt, still = high_pass_filter(rate, cut)
+    wide = np.concatenate((2 * x[0] - x[PAD:0:-1], x, 2 * x[-1] - x[-2 : -PAD - 2 : -1]))
+    once = lambda s: filt.run(s, still * s[0])[0]
+    return once(once(wide)[::-1])[::-1][PAD:-PAD]
 
 
 def remove_gravity(
-    df: DataFrame, columns: list[str], rate: float = 100.0, part: str = "session", t: str = "t"
+    df: DataFrame, columns: list[str], rate: float = 100.0, part: str = "session", t: str = "t", tie: str | None = None,
+    size: int = 65_536, block: float = series.BLOCK_S,
 ) -> DataFrame:
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(t, kind="stable").reset_index(drop=True)
+    """Adds <column>_hp, each series' zero-phase high-pass in the order of time; nulls and NaN spread as they do in it.
+
+    A series is cut into blocks of ``size`` samples (the last one up to twice that).  A block maps the filter's state
+    to the state after it, an affine map; the maps are composed over one row a block, once forward and, over what the
+    forward pass gives, once backward, so a series of any length is many tasks.
+    """
+    filt, still = high_pass_filter(rate)
+    own = series.placed(df, part, t, tie, block)
+    key = [part, "_b"]
+    own = own.withColumn("_b", F.least(F.floor(F.col("_i") / size), F.greatest(F.floor(F.col("_n") / size), F.lit(1)) - 1).cast("long"))
+    kind = df.schema[part].dataType.simpleString()
+    state = ", ".join(f"`s{k}` array<double>" for k in range(len(columns)))
+
+    def widened(p: pd.DataFrame, c: str) -> np.ndarray:
+        """A block's samples, with the continuation where it is the first or last of its series."""
+        x, first, last = p[c].to_numpy(float), p["_i"].iloc[0] == 0, p["_i"].iloc[-1] == p["_n"].iloc[0] - 1
+        head = 2 * x[0] - x[PAD:0:-1] if first else x[:0]
+        tail = 2 * x[-1] - x[-2 : -PAD - 2 : -1] if last else x[:0]
+        return np.concatenate((head, x, tail))
+
+    def told(p: pd.DataFrame, maps: list[list[float]], count: int) -> pd.DataFrame:
+        row = {part: p[part].iloc[0], "_b": p["_b"].iloc[0], "count": count} | {f"s{k}": m for k, m in enumerate(maps)}
+        return pd.DataFrame([row])
+
+    def forward(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("_i")
+        maps = []
         for c in columns:
-            p[f"{c}_hp"] = high_pass(p[c].to_numpy(float), rate)
+            x = widened(p, c)
+            begin = still * x[0] if p["_i"].iloc[0] == 0 else np.zeros(2)
+            maps.append(filt.run(x, begin)[1].tolist())
+        return told(p, maps, len(x))
+
+    def composed(blocks: DataFrame, backward: bool) -> DataFrame:
+        """(part, _b, s...): the state that enters each block, from the states after blocks that began with none."""
+
+        def run(p: pd.DataFrame) -> pd.DataFrame:
+            p = p.sort_values("_b", ascending=not backward).reset_index(drop=True)
+            entering = {f"s{k}": [] for k in range(len(columns))}
+            for name, out in entering.items():
+                z = np.zeros(2)
+                for n, (m, count) in enumerate(zip(p[name], p["count"])):
+                    out.append(z.tolist())
+                    z = (filt.power(int(count)) @ z if n else 0.0) + np.asarray(m, float)
+            return p[[part, "_b"]].assign(**entering)
+
+        return blocks.groupBy(part).applyInPandas(run, f"`{part}` {kind}, _b long, {state}")
+
+    def passed(p: pd.DataFrame, states: pd.DataFrame, c: int) -> np.ndarray:
+        x = widened(p, columns[c])
+        return filt.run(x, still * x[0] if p["_i"].iloc[0] == 0 else np.asarray(states[f"s{c}"].iloc[0], float))[0]
+
+    def backward(p: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("_i")
+        last, maps = p["_i"].iloc[-1] == p["_n"].iloc[0] - 1, []
+        for c in range(len(columns)):
+            y = passed(p, states, c)[::-1]
+            maps.append(filt.run(y, still * y[0] if last else np.zeros(2))[1].tolist())
+        return told(p, maps, len(y))
+
+    def finished(p: pd.DataFrame, states: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("_i").reset_index(drop=True)
+        last, head = p["_i"].iloc[-1] == p["_n"].iloc[0] - 1, PAD if p["_i"].iloc[0] == 0 else 0
+        for c, name in enumerate(columns):
+            y = passed(p, states, c)[::-1]
+            out = filt.run(y, still * y[0] if last else np.asarray(back[f"s{c}"].iloc[0], float))[0][::-1]
+            p[f"{name}_hp"] = out[head : head + len(p)]
         return p
 
-    return df.groupBy(part).applyInPandas(
-        run,
-        ", ".join(
-            [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{c}_hp` double" for c in columns]
-        ),
-    )
+    names = df.columns
+    small = own.filter(F.col("_n") <= PAD)
+    long = own.filter(F.col("_n") > PAD)
+    narrow = long.select(*key, "_i", "_n", *columns)
+    into = composed(narrow.groupBy(*key).applyInPandas(forward, f"`{part}` {kind}, _b long, count long, {state}"), False)
+    ahead = narrow.groupBy(*key).cogroup(into.groupBy(*key)).applyInPandas(backward, f"`{part}` {kind}, _b long, count long, {state}")
+    out = composed(ahead, True)
+    both = into.join(out.select(*key, *(F.col(f"s{k}").alias(f"r{k}") for k in range(len(columns)))), key)
+    whole = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + [f"`{c}_hp` double" for c in columns])
+
+    def close(p: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        back = states.rename(columns={f"r{k}": f"b{k}" for k in range(len(columns))})
+        back = back[[f"b{k}" for k in range(len(columns))]].rename(columns={f"b{k}": f"s{k}" for k in range(len(columns))})
+        return finished(p, states, back)[[*names, *(f"{c}_hp" for c in columns)]]
+
+    done = long.select(*key, "_i", "_n", *(c for c in names if c != part)).groupBy(*key).cogroup(both.groupBy(*key)).applyInPandas(close, whole)
+    return done.unionByName(small.select(*names, *(F.col(c).cast("double").alias(f"{c}_hp") for c in columns)))
 
 
 def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
@@ -201,3 +319,55 @@ def resample_audio(df: DataFrame, to: int, samples: str = "samples", rate: str =
         return pd.Series([None if a is None else resample(np.asarray(a, float), int(q), to) for a, q in zip(x, r)])
 
     return df.withColumn(samples, run(F.col(samples), F.col(rate))).withColumn(rate, F.lit(to))
+
+
+def resample_blocks(
+    blocks: DataFrame, to: int, part: str = "session", block: str = "block", samples: str = "samples", rate: str = "rate"
+) -> DataFrame:
+    """(part, block, first, samples, rate) at a new rate, ``first`` being the place of a block's first sample in its recording.
+
+    A recording comes as blocks numbered from 0 of one length, the last one shorter, and needn't be in one task: a block
+    gets what the filter reaches of its neighbours, and makes the samples whose times lie in it.  The blocks of a
+    recording must be at least as long as the filter reaches (10 * max(up, down) / up samples), or be only one.
+    """
+    kind, number = (blocks.schema[c].dataType.simpleString() for c in (part, block))
+    size = blocks.filter(F.col(block) == 0).select(F.col(part).alias("_p"), F.size(samples).cast("long").alias("_size"))
+    known = blocks.join(size, F.col(part).eqNullSafe(F.col("_p"))).drop("_p")
+    role = lambda k, shift, x: F.struct(F.lit(k).alias("role"), (F.col(block) + shift).alias("b"), x.alias("x"))
+    reach = (F.ceil(10 * F.greatest(F.col(rate), F.lit(to)) / F.lit(to)) + 1).cast("int")
+    tail = F.slice(samples, F.greatest(F.size(samples) - reach + 1, F.lit(1)), reach)
+    sent = known.withColumn("_s", F.explode(F.array(role(0, 0, F.col(samples)), role(1, 1, tail), role(2, -1, F.slice(samples, F.lit(1), reach)))))
+    sent = sent.select(part, rate, "_size", "_s.*").filter("b >= 0")
+
+    def run(p: pd.DataFrame) -> pd.DataFrame:
+        own = {r: np.asarray(x, float) for r, x in zip(p["role"], p["x"])}
+        if 0 not in own:  # beyond the last block
+            return pd.DataFrame({part: [], block: [], "first": [], samples: [], rate: []}, dtype=object)
+        x, before, after = own[0], own.get(1, np.zeros(0)), own.get(2, np.zeros(0))
+        q, number_of = int(p[rate].iloc[0]), int(p["b"].iloc[0])
+        d = math.gcd(q, to)
+        up, down, start = to // d, q // d, number_of * int(p["_size"].iloc[0])
+        most = max(up, down)
+        # the outputs whose places lie between this block's first sample and the next block's
+        low, high = -(-start * up // down), -(-(start + len(x)) * up // down)
+        if up == down:
+            made = x
+        else:
+            k = np.arange(-10 * most, 10 * most + 1)
+            taps = np.sinc(k / most) * np.kaiser(len(k), 5.0)
+            taps *= up / taps.sum()
+            around, first = np.concatenate((before, x, after)), start - len(before)
+            made = np.zeros(high - low)
+            for at in range(0, high - low, 8192):
+                place = np.arange(low + at, min(high, low + at + 8192)) * down
+                near = -(-(place - 10 * most) // up)
+                which = near[:, None] + np.arange(20 * most // up + 1)
+                tap = place[:, None] - which * up + 10 * most
+                inside = (tap >= 0) & (tap <= 20 * most) & (which >= first) & (which < first + len(around))
+                values = around[np.clip(which - first, 0, len(around) - 1)] * taps[np.clip(tap, 0, 20 * most)]
+                made[at : at + len(place)] = np.where(inside, values, 0.0).sum(axis=1)
+        return pd.DataFrame({part: [p[part].iloc[0]], block: [number_of], "first": [low], samples: [made.tolist()], rate: [to]})
+
+    return sent.groupBy(part, "b").applyInPandas(
+        run, f"`{part}` {kind}, `{block}` {number}, first long, `{samples}` array<double>, `{rate}` int"
+    )

@@ -27,6 +27,30 @@ def numbers(first: Column, last: Column, most: int = MOST_NUMBERS) -> Column:
     ).otherwise(wrong)
 
 
+#: Seconds of a block into which a series is cut, so that a long one isn't one task.
+BLOCK_S = 3600.0
+
+
+def _before(column: str, part: str, block: str = "_block") -> Column:
+    """The sum of a column over a series' earlier blocks, of one row a block."""
+    w = Window.partitionBy(part).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(w), F.lit(0))
+
+
+def placed(df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None, block: float = BLOCK_S) -> DataFrame:
+    """df with _i, a row's number in its series from 0 in the order of time (and ``tie``), and _n, the series' rows.
+
+    Rows are numbered inside blocks of time; only the blocks' counts, a row a block, are summed over a series.
+    """
+    cut = df.withColumn("_block", F.floor(F.col(t) / block))
+    counts = cut.groupBy(part, "_block").agg(F.count("*").alias("_rows"))
+    bases = counts.withColumn("_base", _before("_rows", part)).withColumn("_n", F.sum("_rows").over(Window.partitionBy(part))).drop("_rows")
+    bases = bases.select(F.col(part).alias("_p"), F.col("_block").alias("_pb"), "_base", "_n")
+    inside = F.row_number().over(Window.partitionBy(part, "_block").orderBy(t, *([tie] if tie else [])))
+    joined = cut.withColumn("_i", inside).join(bases, F.col(part).eqNullSafe(F.col("_p")) & F.col("_block").eqNullSafe(F.col("_pb")))
+    return joined.withColumn("_i", F.col("_i") - 1 + F.col("_base")).drop("_p", "_pb", "_base", "_block")
+
+
 def motion(df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
     """Distance, speed and heading from the row before, and the distance so far; the first row has 0, 0 and the second's heading.
 
@@ -140,30 +164,40 @@ def first_by_time(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     ).filter("_n = 1").drop("_n")
 
 
+def _with_totals(df: DataFrame, part: str, totals: dict[str, Column]) -> DataFrame:
+    """df with figures of each series, pre-aggregated and joined, so that a series needn't be in one task."""
+    held = df.groupBy(F.col(part).alias("_part")).agg(*(v.alias(k) for k, v in totals.items()))
+    return df.join(held, F.col(part).eqNullSafe(F.col("_part")))
+
+
 def z_score(df: DataFrame, columns: list[str], part: str = "session", least: float = 1e-8) -> DataFrame:
     """Centred by the mean and scaled by the sample deviation; only centred where that is tiny."""
-    w = Window.partitionBy(part)
-    for c in columns:
-        dev = F.stddev_samp(c).over(w)
-        df = df.withColumn(
-            f"{c}_z",
-            (F.col(c) - F.avg(c).over(w)) / F.when(dev < least, F.lit(1.0)).otherwise(F.coalesce(dev, F.lit(1.0))),
-        )
-    return df
+    names = df.columns
+    totals = {f"_a_{c}": F.avg(c) for c in columns} | {f"_s_{c}": F.stddev_samp(c) for c in columns}
+    scaled = [
+        (
+            (F.col(c) - F.col(f"_a_{c}"))
+            / F.when(F.col(f"_s_{c}") < least, F.lit(1.0)).otherwise(F.coalesce(F.col(f"_s_{c}"), F.lit(1.0)))
+        ).alias(f"{c}_z")
+        for c in columns
+    ]
+    return _with_totals(df, part, totals).select(*names, *scaled)
 
 
 def min_max(
     df: DataFrame, column: str, low: float, high: float, part: str = "session", floor: float = 1e-9
 ) -> DataFrame:
     """Scaled to [low, high] over the series."""
-    w = Window.partitionBy(part)
-    a, b = F.min(column).over(w), F.max(column).over(w)
-    return df.withColumn(f"{column}_n", (F.col(column) - a) / F.greatest(b - a, F.lit(floor)) * (high - low) + low)
+    both = _with_totals(df, part, {"_low": F.min(column), "_high": F.max(column)})
+    share = (F.col(column) - F.col("_low")) / F.greatest(F.col("_high") - F.col("_low"), F.lit(floor))
+    return both.select(*df.columns, (share * (high - low) + low).alias(f"{column}_n"))
 
 
 def peak(df: DataFrame, column: str, part: str = "session", least: float = 1e-8) -> DataFrame:
-    top = F.max(F.abs(F.col(column))).over(Window.partitionBy(part))
-    return df.withColumn(f"{column}_p", F.when(top < least, F.col(column)).otherwise(F.col(column) / top))
+    """Scaled to a largest size of 1, unless that is tiny."""
+    both = _with_totals(df, part, {"_top": F.max(F.abs(F.col(column)))})
+    scaled = F.when(F.col("_top") < least, F.col(column)).otherwise(F.col(column) / F.col("_top"))
+    return both.select(*df.columns, scaled.alias(f"{column}_p"))
 
 
 def gaps(df: DataFrame, part: str = "session", t: str = "t") -> DataFrame:

@@ -574,7 +574,7 @@ r AS (SELECT session, i, {_PASS.format(v='v')} FROM (SELECT session, i, y AS v,
 SELECT f.session, event_id, round(coalesce(r.y, x), 6) AS value_hp FROM f LEFT JOIN r ON r.session = f.session AND r.i = f.i""")
 def gravity_highpass(spark, d):
     return folds.remove_gravity(
-        st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"]
+        st.sensor(spark, d).select("session", "event_id", "t", "value"), ["value"], tie="event_id"
     ).select("session", "event_id", *r6("value_hp"))
 
 
@@ -583,13 +583,11 @@ n AS (SELECT session, count(*) AS n FROM f GROUP BY session), m AS (SELECT sessi
 SELECT m.session, 16000 AS rate, place, round(sum(value * w) / (SELECT sum(w) FROM h), 6) AS sample FROM m JOIN f ON f.session = m.session AND frame BETWEEN 3 * place - 30 AND 3 * place + 30 JOIN h ON k = 3 * place - frame GROUP BY ALL""")
 def audio_resample(spark, d):
     f = st.frames(spark, d)
-    pcm = f.groupBy("session").agg(
+    pcm = f.groupBy("session", F.floor(F.col("frame") / 4096).alias("block")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("frame", "value"))), lambda x: x["value"]).alias("samples")
     ).withColumn("rate", F.lit(48_000))
-    out = folds.resample_audio(pcm, 16_000)
-    return out.select(
-        "session", "rate", F.posexplode("samples").alias("place", "sample")
-    ).withColumn("sample", F.round("sample", 6))
+    out = folds.resample_blocks(pcm, 16_000).select("session", "rate", "first", F.posexplode("samples").alias("k", "sample"))
+    return out.select("session", "rate", (F.col("first") + F.col("k")).alias("place"), F.round("sample", 6).alias("sample"))
 
 
 _FEATURES = ", ".join(f'"{k.replace(".", "_")}":"{v}"' for k, v in writers.FEATURES.items()).replace(", ", ",")
