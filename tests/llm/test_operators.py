@@ -10,6 +10,7 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from tests.compare import duck, rows
@@ -180,9 +181,15 @@ def test_mixing_against_sql(docs, empty):
     assert taken == got["taken"].sum()
 
 
+def _hash(text):
+    """The hash by which rows of one id are ordered."""
+    h = xxhash.xxh64((text or "").encode(), seed=42).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
 def test_fingerprints(spark, docs, empty):
     got = fingerprint.edited_fingerprints(docs).toPandas().sort_values(["doc_id", "n_chars"])
-    order = sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda x: (x[0], x[1] or ""))
+    order = sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda x: (x[0], _hash(x[1])))
     edited = []
     for (_, a), (_, b) in zip(order, [*order[1:], order[0]]):
         a, b = a or "", b or ""
@@ -205,6 +212,30 @@ def test_fingerprints_over_many_parts(spark):
     assert all(follows[k * 7] == (k + 1) % 300 * 7 for k in range(300))
 
 
+@pytest.mark.parametrize("each", [7, 100, 10_000])
+def test_fingerprint_parts_of_hot_ids(spark, each):
+    """Rows of one id and without id are many parts, and each still meets its successor."""
+    rows_ = [(None, f"n{k}") for k in range(400)] + [(5, f"t{k}") for k in range(400)] + [(k, f"x{k}") for k in range(200)]
+    rows_ += [(5, "again")] * 30 + [(None, None)] * 3
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(4)
+    whole = fingerprint.in_order(df, rows_per_part=each).toPandas()
+    assert (whole.sentinel == 0).sum() == len(rows_)
+    own = [(None if i != i else int(i), t) for i, t in zip(whole[whole.sentinel == 0].id, whole[whole.sentinel == 0].text)]
+    assert Counter(own) == Counter((i, t or "") for i, t in rows_)
+    if each == 7:
+        assert whole[(whole.id == 5) & (whole.sentinel == 0)].part.nunique() > 30 and whole[whole.id.isna()].part.nunique() > 30
+        assert whole[whole.sentinel == 0].groupby("part").size().max() < 60
+    place = lambda r: (r[0] is not None, r[0] or 0, _hash(r[1]))
+    order = sorted(((i, t or "") for i, t in rows_), key=place)
+    want = Counter(zip(order, [*order[1:], order[0]]))
+    got = Counter()
+    for _, p in whole.groupby("part"):
+        p = [(None if i != i else int(i), t, n) for i, t, n in zip(p.id, p.text, p.sentinel)]
+        p.sort(key=lambda r: (r[2], place(r)))
+        got.update((a[:2], b[:2]) for a, b in zip(p, p[1:]) if not a[2])
+    assert got == want
+
+
 def test_sketch_estimates():
     rng = np.random.default_rng(4)
     words = [f"t{x}" for x in rng.integers(0, 10**9, 4000)]
@@ -528,7 +559,7 @@ def test_quality_scores_by_formula():
 
 def test_fingerprints_against_all_hashes(spark, docs):
     got = fingerprint.edited_fingerprints(docs).toPandas()
-    order = sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda r: (r[0], r[1] or ""))
+    order = sorted([*enumerate(TEXTS), (7, TEXTS[7])], key=lambda r: (r[0], _hash(r[1])))
 
     def hashes(t):
         words = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))

@@ -173,49 +173,102 @@ def merged_fingerprints(rows: DataFrame, key: str, column: str = "fingerprint")
     ).select(key, column).mapInArrow(part, schema).groupBy(key).applyInArrow(whole, schema)
 
 
+def _bounds(ids: DataFrame, rows_per_part: int, most_parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known, id, hash) at which parts begin, ascending, for about ``rows_per_part`` rows a part.
+
+    Ids are cut at percentiles; an id that takes several percentiles is cut by even shares of the hashes, and so are
+    the null ids, which come first (known is 0).
+    """
+    rows, nulls = ids.agg(F.count("*"), F.count_if(F.col("id").isNull())).first()
+    each = max(rows_per_part, -(-rows // most_parts))
+    known, where, hashes = [], [], []
+
+    def add(is_known: int, value: int, pieces: int) -> None:
+        for j in range(pieces):
+            known.append(is_known)
+            where.append(value)
+            hashes.append(-(1 << 63) + (1 << 64) * j // pieces)
+
+    if nulls:
+        add(0, 0, -(-nulls // each))
+    parts = -(-(rows - nulls) // each)
+    if parts > 1:
+        shares = [k / parts for k in range(1, parts)]
+        found = ids.agg(F.percentile_approx("id", shares, max(10_000, 10 * parts))).first()[0]  # at most ``most_parts`` ids
+        for value, count in zip(*np.unique(found, return_counts=True)):
+            add(1, int(value), int(count))
+    return np.array(known, np.int64), np.array(where, np.int64), np.array(hashes, np.int64)
+
+
+def _part_of(bounds: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray, null: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How many bounds are at or before each row."""
+    known, where, cut = bounds
+    nulls = int((known == 0).sum())
+    own = where[nulls:]
+    low, high = np.searchsorted(own, ids, side="left") + nulls, np.searchsorted(own, ids, side="right") + nulls
+    low[null], high[null] = 0, nulls
+    out = low.copy()
+    for at in np.unique(low[low < high]).tolist():  # the rows of an id at which parts begin
+        rows = (low == at) & (low < high)
+        end = int(high[rows][0])
+        out[rows] = at + np.searchsorted(cut[at:end], hashes[rows], side="right")
+    return out
+
+
 def in_order(
     docs: DataFrame, rows_per_part: int = 1000, most_parts: int = 65_536, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(part, sentinel, id, text) sorted inside partitions so that a row's successor by (id, text) is the next row of its part.
+    """(part, sentinel, id, text) sorted inside partitions so that a row's successor by (id, hash of the text, text) is the next row of its part.
 
-    Parts are id ranges between percentiles, which are ids that occur; the rows
-    of a boundary id are sent to the part before too, as its sentinel, and the
-    first rows of all to the last part.  Texts are shuffled once.  Null ids come
-    first.
+    Parts are ranges of (id, hash), so that rows of one id, or with none, are
+    many parts as well; only repeated rows, alike in id and text, are in one.
+    The first row of a part is sent to the part before too, as its sentinel
+    (with its repetitions), and the first of all to the last.  Texts are shuffled
+    once.  Null ids come first.
     """
-    ids = docs.select(F.col(id_col).cast("long").alias("id"))
-    low, rows, nulls = ids.agg(F.min("id"), F.count("*"), F.count_if(F.col("id").isNull())).first()
-    parts = max(1, min(most_parts, -(-rows // rows_per_part)))
-    bounds = np.zeros(0, np.int64)
-    if parts > 1 and low is not None:
-        shares = [k / parts for k in range(1, parts)]
-        bounds = np.unique(ids.agg(F.percentile_approx("id", shares, max(10_000, 10 * parts))).first()[0])  # at most ``most_parts`` ids
-        bounds = bounds[bounds > (low if not nulls else low - 1)]
-    last = len(bounds)
-
-    @F.pandas_udf("array<long>")
-    def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for x in batches:
-            null = x.isna().to_numpy()
-            value = x.fillna(0).to_numpy(np.int64)
-            part = np.where(null, 0, np.searchsorted(bounds, value, side="right"))
-            edge = ~null & (part > 0) & (bounds[np.maximum(part - 1, 0)] == value) if last else np.zeros(len(x), bool)
-            first = null if nulls else ~null & (value == (low if low is not None else 0))
-            out = [[2 * p] for p in part.tolist()]
-            for i in np.flatnonzero(edge).tolist():
-                out[i].append(2 * (part[i] - 1) + 1)
-            for i in np.flatnonzero(first).tolist():
-                out[i].append(2 * last + 1)
-            yield pd.Series(out, index=x.index)
-
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
-    ).withColumn("place", F.explode(places("id")))
-    rows = rows.select(
-        F.shiftright("place", 1).alias("part"), (F.col("place") % 2).alias("sentinel"), "id",
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    return rows.repartition("part").sortWithinPartitions("part", "sentinel", "id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    bounds = _bounds(rows.select("id"), rows_per_part, most_parts)
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+
+    def numbers(ids: pd.Series, hashes: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        null, value = ids.isna().to_numpy(), ids.fillna(0).to_numpy(np.int64)
+        h = hashes.to_numpy(np.int64)
+        return null, value, h, _part_of(bounds, value, null, h)
+
+    @F.pandas_udf("long")
+    def part(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series(numbers(ids, hashes)[3])
+
+    heads: list = []
+    if len(bounds[0]):
+        first = hashed.select("id", "hash").withColumn("part", part("id", "hash")).groupBy("part").agg(
+            F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "hash")).alias("f")
+        )
+        heads = sorted((r.part, r.f.id, r.f.hash) for r in first.collect())  # at most ``most_parts`` rows, and those of heavy ids
+    # the part before each one that has rows; with a single one it follows itself
+    before = {(p[1], p[2]): heads[k - 1][0] for k, p in enumerate(heads)}
+
+    if heads:
+
+        @F.pandas_udf("array<long>")
+        def places(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+            null, value, h, own = numbers(ids, hashes)
+            out = [[2 * p] for p in own.tolist()]
+            keys = {x[2] for x in heads}
+            for i in np.flatnonzero(np.isin(h, np.fromiter(keys, np.int64, len(keys)))).tolist():
+                key = (None if null[i] else int(value[i]), int(h[i]))
+                if key in before:
+                    out[i].append(2 * before[key] + 1)
+            return pd.Series(out, index=ids.index)
+
+        placed = hashed.withColumn("place", F.explode(places("id", "hash")))
+    else:  # one part: its first rows follow the last
+        least = hashed.agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id", "hash")).alias("f")).first().f
+        is_first = (F.col("id").eqNullSafe(F.lit(least.id if least else None)) & (F.col("hash") == F.lit(least.hash if least else 0)))
+        zero, one = F.array(F.lit(0).cast("long")), F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
+        placed = hashed.withColumn("place", F.explode(F.when(is_first, one).otherwise(zero)))
+    out = placed.select(F.shiftright("place", 1).alias("part"), (F.col("place") % 2).alias("sentinel"), "id", "hash", "text")
+    return out.repartition("part").sortWithinPartitions("part", "sentinel", "id", "hash", "text").drop("hash")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +277,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, id_col: str = "doc_id", tex
     The edited text keeps all but the last floor(n_chars / 2) code points and
     goes on with the first as many (or all) of the next document by ascending
     id; after the last comes the first, and a lone document follows itself.
-    Equal ids are ordered by text, null ids come first, a null text is empty.
+    Equal ids are ordered by the hash of their text, null ids come first, a null text is empty.
     Other columns are left out; an empty table gives an empty result.  Ids are
     long integers.
 

@@ -35,6 +35,8 @@ from wearlake.llm.runtime import shared_dir
 BLOCK_IDS, CHUNK_BLOCKS = rangecoder.BLOCK_IDS, 2048
 #: Bytes of text for each part: about one chunk of ids.
 PART_BYTES = 16 << 20
+#: Most parts of a file; a larger table has larger parts (each is many chunks), so that what is kept of each part stays small.
+MOST_PARTS = 65_536
 _HEAD, _BLOCK = struct.Struct("<4sBIII"), struct.Struct("<III")
 
 
@@ -94,7 +96,7 @@ def write_token_file(
     chunk.  Ids must be long integers.
 
     Parts are ranges of (id, hash of the text), so rows of one id need not be
-    one part; each holds about PART_BYTES of text.
+    one part; each holds about PART_BYTES of text, or more where there would be over MOST_PARTS.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +132,7 @@ def write_token_file(
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     place = ("id", F.xxhash64("text"), "text")
-    sorted_rows = rows.repartitionByRange(max(1, -(-size // PART_BYTES)), *place[:2]).sortWithinPartitions(*place)
+    sorted_rows = rows.repartitionByRange(max(1, min(MOST_PARTS, -(-size // PART_BYTES))), *place[:2]).sortWithinPartitions(*place)
     chunks = sorted_rows.mapInArrow(run, "part long, chunk long, first_id long, n_ids long, payload binary")
     chunks.write.option("compression", "none").parquet(path)  # payloads are coded already
 
@@ -139,7 +141,7 @@ def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id", with
     """Per document from the files: id, start (ids of all documents before it), n_tokens, ids_crc32, ids.
 
     Every block is decoded and its checksum verified; without ``with_ids`` the
-    ids themselves stay behind.  Only one number per part reaches the driver.
+    ids themselves stay behind.  Only one number per part, of at most MOST_PARTS, reaches the driver.
     """
     chunks = spark.read.schema("part long, chunk long, first_id long, n_ids long, payload binary").parquet(path)
     sizes = {r["part"]: r["n"] for r in chunks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
