@@ -534,9 +534,24 @@ def kalman_smooth(spark, d):
     return out.select("session", "event_id", *r6("lat_smooth", "lon_smooth"))
 
 
-@query()
+_JOIN = "{{'a': {p}.a, 'b': {q}.b, 'c': greatest({p}.c, {q}.c), 'm': ({p}.m * ({p}.b - {p}.a) + {q}.m * ({q}.b - {q}.a)) / ({p}.b - {p}.a + {q}.b - {q}.a)}}"
+
+
+@query(_HYST.replace("WITH ", "WITH RECURSIVE ", 1) + f""", y AS (SELECT session, start_frame AS a, end_frame AS b, least(1e0, m / 6) AS c, m FROM x
+ UNION ALL SELECT session, 0, max(frame) + 1, 5e-1, avg(magnitude) FROM f WHERE session NOT IN (SELECT session FROM x) GROUP BY session),
+u AS (SELECT session, list({{'a': a::BIGINT, 'b': b::BIGINT, 'c': c::DOUBLE, 'm': m::DOUBLE}} ORDER BY a) AS q, list({{'a': a::BIGINT, 'b': b::BIGINT, 'c': c::DOUBLE, 'm': m::DOUBLE}}) FILTER (WHERE false) AS d, false AS again FROM y GROUP BY session
+ UNION ALL SELECT session,
+  CASE WHEN len(q) = 0 THEN d WHEN short AND len(q) > 1 THEN q[3:] ELSE q[2:] END,
+  CASE WHEN len(q) = 0 THEN q WHEN short AND len(q) > 1 THEN list_append(coalesce(d, []), {_JOIN.format(p='q[1]', q='q[2]')})
+   WHEN short AND len(d) > 0 THEN list_append(d[:-2], {_JOIN.format(p='d[-1]', q='q[1]')}) ELSE list_append(coalesce(d, []), q[1]) END,
+  CASE WHEN len(q) = 0 THEN false ELSE again OR (short AND (len(q) > 1 OR coalesce(len(d), 0) > 0)) END
+ FROM (SELECT *, len(q) > 0 AND q[1].b - q[1].a < 15 AS short FROM u) WHERE len(q) > 0 OR again),
+z AS (SELECT session, unnest(d) AS r FROM u WHERE len(q) = 0 AND NOT again)
+SELECT session, r.a AS start_frame, r.b AS end_frame, round(r.c, 6) AS confidence, round(r.m, 6) AS motion_magnitude FROM z""")
 def merge_short_segments(spark, d):
-    return folds.merge_short(series.hysteresis(st.frames(spark, d)))
+    return folds.merge_short(series.hysteresis(st.frames(spark, d))).select(
+        "session", "start_frame", "end_frame", *r6("confidence", "motion_magnitude")
+    )
 
 
 @query(f"""WITH RECURSIVE {st.SENSOR}, r AS (SELECT session, event_id, row_number() OVER (PARTITION BY session ORDER BY t, event_id) AS n, value / 100 AS gx, speed / 10 AS gy, magnitude AS gz FROM s),

@@ -274,10 +274,11 @@ def _index(spark, d) -> DataFrame:
 
 
 @query(f"""WITH {_TASKS} SELECT 'ep/' || e.id AS episode_path, episode_index, 'a' || quality AS action_type, '' AS scenario, CASE WHEN x.id % 2 = 0 THEN 'hi' ELSE '' END AS instruction_hi, 2 AS quality, annotator
-FROM x LEFT JOIN (SELECT doc_id AS id FROM documents WHERE doc_id % 3 = 0) e ON e.id = x.episode_index WHERE n = 1""")
+FROM x LEFT JOIN (SELECT doc_id * 3 AS id FROM documents) e ON e.id = x.episode_index WHERE n = 1""")
 def annotation_lines(spark, d):
-    e = st.read(spark, d, "documents").filter("doc_id % 3 = 0").select(
-        F.col("doc_id").alias("episode_index"), F.concat(F.lit("ep/"), F.col("doc_id").cast("string")).alias("path")
+    number = F.col("doc_id") * 3  # every document an episode, of each third annotation
+    e = st.read(spark, d, "documents").select(
+        number.alias("episode_index"), F.concat(F.lit("ep/"), number.cast("string")).alias("path")
     )
     return labeling.annotation_lines(_index(spark, d), e).select(
         "episode_path", "episode_index", "action_type", "scenario", "instruction_hi", "quality", "annotator"
@@ -296,9 +297,9 @@ def labels_group(spark, d):
     )
 
 
-@query(f"WITH {_TASKS} SELECT count(*) AS total, count(x.episode_index) AS updated, count(*) - count(x.episode_index) AS skipped FROM (SELECT doc_id FROM documents WHERE doc_id % 3 = 0) e LEFT JOIN (SELECT episode_index FROM x WHERE n = 1) x ON x.episode_index = e.doc_id")
+@query(f"WITH {_TASKS} SELECT count(*) AS total, count(x.episode_index) AS updated, count(*) - count(x.episode_index) AS skipped FROM documents e LEFT JOIN (SELECT episode_index FROM x WHERE n = 1) x ON x.episode_index = e.doc_id * 3")
 def export_summary(spark, d):
-    e = st.read(spark, d, "documents").filter("doc_id % 3 = 0").select(F.col("doc_id").alias("episode_index"))
+    e = st.read(spark, d, "documents").select((F.col("doc_id") * 3).alias("episode_index"))
     return labeling.export_summary(e, _index(spark, d))
 
 
@@ -392,10 +393,12 @@ def assemble_session(spark, d):
     )
 
 
-@query(f"WITH {st.CHUNKS} SELECT session, chunk FROM c WHERE chunk % 2 = 0 INTERSECT SELECT session, chunk FROM c WHERE chunk % 3 = 0")
+@query(f"WITH {st.CHUNKS} SELECT session, chunk % 50 AS chunk FROM c INTERSECT SELECT session, (chunk + 7) % 45 FROM c")
 def common_chunks(spark, d):
     c = st.chunks(spark, d)
-    return assembly.common_chunks(c.filter("chunk % 2 = 0"), c.filter("chunk % 3 = 0"))
+    return assembly.common_chunks(
+        c.withColumn("chunk", F.col("chunk") % 50), c.withColumn("chunk", (F.col("chunk") + 7) % 45)
+    )
 
 
 @query(f"""WITH {st.CHUNKS} SELECT session::VARCHAR AS session_id, round(CASE WHEN session % 5 = 0 THEN 0 ELSE max(end_time) END - min(start_time), 2) AS duration, CASE WHEN session % 2 = 0 THEN 'hi' ELSE '?' END AS language, session % 3 = 0 AS has_video, false AS has_audio, false AS has_imu FROM c GROUP BY session""")
@@ -411,22 +414,26 @@ def session_summaries(spark, d):
     return catalog.session_summary(s).select("session_id", "duration", "language", "has_video", "has_audio", "has_imu")
 
 
-_BYTES = "list_transform(embedding, lambda x: floor(abs(x::DOUBLE) * 1000)::BIGINT % 256)"
-
-
-@query(f"""WITH b AS (SELECT vec_id, {_BYTES} AS v FROM embeddings), n AS (SELECT *, sqrt(list_sum(list_transform(v, lambda x: (x / 255e0) * (x / 255e0)))) AS size FROM b)
-SELECT vec_id, 512 AS n, round(CASE WHEN size > 0 THEN v[1] / 255e0 / size ELSE 0 END, 6) AS first, round(CASE WHEN size > 0 THEN v[64] / 255e0 / size ELSE 0 END, 6) AS last, round(CASE WHEN size > 0 THEN list_sum(v) / 255e0 / size ELSE 0 END, 6) AS total FROM n""")
+@query("""WITH p AS (SELECT vec_id, i, (floor(abs(embedding[i % 64 + 1]::DOUBLE) * 1000)::BIGINT % 256 + i * 7) % 256 AS v FROM embeddings, range(768) t(i)),
+b AS (SELECT vec_id, (i // 48) // 2 * 8 + (i // 3 % 16) // 2 AS block, i % 3 AS channel, avg(v / 255e0) AS mean, stddev_pop(v / 255e0) AS dev FROM p GROUP BY ALL),
+n AS (SELECT vec_id, sqrt(sum(mean * mean + dev * dev)) AS size, sum(mean + dev) AS total, sum(mean) FILTER (WHERE block = 0 AND channel = 0) AS first,
+ sum(dev) FILTER (WHERE block = 63 AND channel = 2) AS last FROM b GROUP BY vec_id)
+SELECT vec_id, 512 AS n, round(first / size, 6) AS first, round(last / size, 6) AS last, round(total / size, 6) AS total FROM n""")
 def image_embedding(spark, d):
-    value = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000) % 256)
+    """Frames of 16 x 16 pixels and three channels, so blocks have deviations."""
+    value = F.transform(
+        F.sequence(F.lit(0), F.lit(767)),
+        lambda i: (F.floor(F.abs(F.get("embedding", i % 64).cast("double")) * 1000) % 256 + i * 7) % 256,
+    )
     raw = F.unhex(F.array_join(F.transform(value, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
     f = st.read(spark, d, "embeddings").select(
-        "vec_id", raw.alias("image"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("channels")
+        "vec_id", raw.alias("image"), F.lit(16).alias("height"), F.lit(16).alias("width"), F.lit(3).alias("channels")
     )
     e = images.embed_images(f, ["vec_id"])
     total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x)
     return e.select(
         "vec_id", F.size("embedding").alias("n"), F.round(F.get("embedding", F.lit(0)), 6).alias("first"),
-        F.round(F.get("embedding", F.lit(126)), 6).alias("last"), F.round(total, 6).alias("total"),
+        F.round(F.get("embedding", F.lit(383)), 6).alias("last"), F.round(total, 6).alias("total"),
     )
 
 
