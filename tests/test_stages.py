@@ -604,3 +604,36 @@ def test_resample_in_blocks(spark):
                 parts = sorted((r["first"], r["samples"]) for r in got if r["session"] == s and r["samples"])
                 assert [f for f, _ in parts] == np.concatenate(([0], np.cumsum([len(v) for _, v in parts])[:-1])).tolist()
                 assert np.allclose(np.concatenate([v for _, v in parts]), folds.resample(x, rate, to), atol=1e-9), (rate, s)
+
+
+def test_series_in_many_blocks_as_in_one(spark):
+    """Motion, runs and segments don't depend on where a series is cut; equal times at cuts, empty blocks and nulls included."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for s, n in (("a", 300), ("b", 1), ("c", 2), (None, 40)):
+        t = np.cumsum(rng.choice([0.0, 0.5, 1.0, 30.0], n))
+        speed = np.where(rng.random(n) < 0.1, 9.0, np.where(np.arange(n) // 17 % 2, 0.5, 6.0))
+        level = np.repeat(rng.choice([0.2, 2.0, 4.0], n // 6 + 1), 6)[:n]
+        rows += [(s, k, float(t[k]), 12.0 + float(rng.normal()) * 1e-3, 77.0, float(speed[k]), float(level[k])) for k in range(n)]
+    rows[5] = (*rows[5][:3], None, 77.0, None, 1.0)
+    df = frame(spark, rows, "session string, n long, t double, lat double, lon double, speed double, magnitude double").repartition(4)
+    results = []
+    for block, frames_ in ((2.0, 7), (40.0, 64), (1e9, 65_536)):
+        moved = series.motion(df, tie="n", block=block)
+        still = series.stationary(df, tie="n", block=block)
+        a = sorted(((r.session or "", r.n, round(r.distance_m, 6), round(r.speed_kmh, 4), round(r.heading, 6), round(r.total_m, 5)) for r in moved.collect()))
+        b = sorted(((r.session or "", r.n, str(r.is_stationary), r.segment_id) for r in still.collect()))
+        c = sorted(((r.session or "", r.start_frame, r.end_frame, round(r.motion_magnitude, 9)) for r in series.hysteresis(df, i="n", block=frames_).collect()))
+        results.append((a, b, c))
+    assert results[0] == results[1] == results[2] and len(results[0][0]) == len(results[0][1]) == len(rows)
+    assert max(r[3] for r in results[0][1]) > 3 and len(results[0][2]) > 8
+
+
+def test_a_long_series_is_many_tasks(spark):
+    """Two million rows of one session: no task of the run and segment windows gets most of them."""
+    df = spark.range(2_000_000).selectExpr("'s' AS session", "id AS n", "id * 1.0D AS t", "12 + id * 1e-7 AS lat", "77D AS lon", "CASE WHEN id % 100 < 50 THEN 0D ELSE 9D END AS speed")
+    cut = df.withColumn("_block", F.floor(F.col("t") / 86_400))
+    spread = cut.repartition(8, "session", "_block").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 4 and max(r["count"] for r in spread) < 1_000_000
+    out = series.stationary(df, tie="n").agg(F.count("*").alias("n"), F.max("segment_id").alias("k")).first()
+    assert tuple(out) == (2_000_000, 20_000)

@@ -51,44 +51,88 @@ def placed(df: DataFrame, part: str = "session", t: str = "t", tie: str | None =
     return joined.withColumn("_i", F.col("_i") - 1 + F.col("_base")).drop("_p", "_pb", "_base", "_block")
 
 
-def motion(df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None) -> DataFrame:
+def _of_blocks(df: DataFrame, found: DataFrame, part: str) -> DataFrame:
+    """df with the columns of a table of one row a series and block."""
+    names = [c for c in found.columns if c not in (part, "_block")]
+    held = found.select(F.col(part).alias("_p"), F.col("_block").alias("_pb"), *names)
+    return df.join(held, F.col(part).eqNullSafe(F.col("_p")) & F.col("_block").eqNullSafe(F.col("_pb"))).drop("_p", "_pb")
+
+
+def _beside(df: DataFrame, columns: list[str], part: str, order: list[str]) -> DataFrame:
+    """df (cut into _block) with _prev and _next, structs of the neighbouring rows' columns, null at the ends of a series.
+
+    Neighbours are found inside blocks; what lies beyond a block's ends comes from one row a block.
+    """
+    value = F.struct(*(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)), *columns)
+    inside = Window.partitionBy(part, "_block").orderBy(*order)
+    ends = df.withColumn("_v", value).groupBy(part, "_block").agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    by = Window.partitionBy(part).orderBy("_block")
+    ends = ends.select(part, "_block", F.lag("_high").over(by).alias("_earlier"), F.lead("_low").over(by).alias("_later"))
+    both = _of_blocks(df.withColumn("_v", value), ends, part)
+    return both.withColumns(
+        {"_prev": F.coalesce(F.lag("_v").over(inside), "_earlier"), "_next": F.coalesce(F.lead("_v").over(inside), "_later")}
+    ).drop("_v", "_earlier", "_later")
+
+
+def _running(df: DataFrame, value: str, name: str, part: str, order: list[str]) -> DataFrame:
+    """df (cut into _block) with the sum of a column up to each row of its series: inside the block, and over the blocks before."""
+    inside = Window.partitionBy(part, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = df.groupBy(part, "_block").agg(F.sum(value).alias("_sum"))
+    bases = sums.select(part, "_block", _before("_sum", part).alias("_base"))
+    joined = _of_blocks(df.withColumn("_own", F.sum(value).over(inside)), bases, part)
+    return joined.withColumn(name, F.col("_base") + F.col("_own")).drop("_own", "_base")
+
+
+def motion(
+    df: DataFrame, part: str = "session", t: str = "t", tie: str | None = None, block: float = 86_400.0
+) -> DataFrame:
     """Distance, speed and heading from the row before, and the distance so far; the first row has 0, 0 and the second's heading.
 
-    Rows of one time are in the order of ``tie``, without it in any.
+    Rows of one time are in the order of ``tie``, without it of their coordinates.  A series is worked through in
+    blocks of ``block`` seconds.
     """
-    w = _order(part, t, tie)
-    at = lambda c: F.lag(c).over(w)
-    step = F.coalesce(geo.haversine(at("lat"), at("lon"), F.col("lat"), F.col("lon")), F.lit(0.0))
-    head = geo.bearing(at("lat"), at("lon"), F.col("lat"), F.col("lon"))
-    dt = F.greatest(F.col(t) - at(t), F.lit(1e-6))
-    out = df.withColumn("distance_m", step).withColumn(
-        "speed_kmh", F.coalesce(F.col("distance_m") / dt * 3.6, F.lit(0.0))
-    ).withColumn("_head", head)
-    out = out.withColumn("heading", F.coalesce("_head", F.lead("_head").over(w), F.lit(0.0))).drop("_head")
-    return out.withColumn("total_m", F.sum("distance_m").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    order = [t, *([tie] if tie else ["lat", "lon"])]
+    names = df.columns
+    near = _beside(df.withColumn("_block", F.floor(F.col(t) / block)), ["lat", "lon"], part, order)
+    lat, lon, prev, after = F.col("lat"), F.col("lon"), F.col("_prev"), F.col("_next")
+    step = F.coalesce(geo.haversine(prev["lat"], prev["lon"], lat, lon), F.lit(0.0))
+    head = F.coalesce(
+        geo.bearing(prev["lat"], prev["lon"], lat, lon), geo.bearing(lat, lon, after["lat"], after["lon"]), F.lit(0.0)
+    )
+    dt = F.greatest(F.col(t) - prev["_o0"], F.lit(1e-6))
+    out = near.withColumn("distance_m", step)
+    out = out.withColumn("speed_kmh", F.coalesce(F.col("distance_m") / dt * 3.6, F.lit(0.0))).withColumn("heading", head)
+    out = _running(out, "distance_m", "total_m", part, order)
+    new = ["distance_m", "speed_kmh", "heading", "total_m"]
+    return out.select(*(c for c in names if c not in new), *new)
 
 
 def stationary(
     df: DataFrame, part: str = "session", t: str = "t", speed: str = "speed", below: float = 2.0, seconds: float = 5.0,
-    tie: str | None = None,
+    tie: str | None = None, block: float = 86_400.0,
 ) -> DataFrame:
-    """is_stationary: rows of a run below the speed that lasts ``seconds``; segment_id grows at each start of moving."""
-    w = _order(part, t, tie)
-    slow = df.withColumn("_slow", F.col(speed) < below)
-    runs = slow.withColumn(
-        "_run",
-        F.sum(
-            F.when(F.col("_slow") != F.lag("_slow").over(w), 1).otherwise(0)
-        ).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-    )
-    inside = Window.partitionBy(part, "_run")
-    marked = runs.withColumn(
-        "is_stationary", F.col("_slow") & (F.max(t).over(inside) - F.min(t).over(inside) >= seconds)
-    )
-    starts = F.when(F.lag("is_stationary").over(w) & ~F.col("is_stationary"), 1).otherwise(0)
-    return marked.withColumn("_starts", starts).withColumn(
-        "segment_id", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ).drop("_slow", "_run", "_starts")
+    """is_stationary: rows of a run below the speed that lasts ``seconds``; segment_id grows at each start of moving.
+
+    Runs are numbered over blocks of ``block`` seconds and their ends pre-aggregated, so neither a long series nor a
+    long run is one task.
+    """
+    order = [t, *([tie] if tie else [speed])]
+    names = [c for c in df.columns if c not in ("is_stationary", "segment_id")]
+    slow = df.withColumn("_slow", F.col(speed) < below).withColumn("_block", F.floor(F.col(t) / block))
+    near = _beside(slow, ["_slow"], part, order).withColumn("_was", F.col("_prev._slow")).drop("_prev", "_next")
+    flips = near.withColumn("_flip", F.when(F.col("_slow") != F.col("_was"), 1).otherwise(0))
+    runs = _running(flips, "_flip", "_run", part, order)
+    spans = runs.groupBy(part, "_run").agg((F.max(t) - F.min(t) >= seconds).alias("_long"))
+    first = spans.select(F.col(part).alias("_p"), F.col("_run").alias("_r"), "_long")
+    earlier = spans.select(F.col(part).alias("_q"), (F.col("_run") + 1).alias("_s"), F.col("_long").alias("_long_before"))
+    told = first.join(earlier, F.col("_p").eqNullSafe(F.col("_q")) & (F.col("_r") == F.col("_s")), "left")
+    told = told.select("_p", "_r", "_long", "_long_before")
+    marked = runs.join(told, F.col(part).eqNullSafe(F.col("_p")) & (F.col("_run") == F.col("_r"))).drop("_p", "_r")
+    marked = marked.withColumn("is_stationary", F.col("_slow") & F.col("_long"))
+    # a run that isn't slow, after one that was stationary
+    begins = (F.col("_flip") == 1) & F.col("_was") & F.col("_long_before")
+    marked = marked.withColumn("_starts", F.when(begins, 1).otherwise(0))
+    return _running(marked, "_starts", "segment_id", part, order).select(*names, "is_stationary", "segment_id")
 
 
 def _neighbours(
@@ -220,24 +264,30 @@ def geo_embedding(df: DataFrame, part: str = "session", fastest: float = 120.0)
 
 
 def hysteresis(
-    df: DataFrame, part: str = "session", i: str = "frame", m: str = "magnitude", high: float = 3.0, low: float = 1.0
+    df: DataFrame, part: str = "session", i: str = "frame", m: str = "magnitude", high: float = 3.0, low: float = 1.0,
+    block: int = 65_536,
 ) -> DataFrame:
     """Action segments: from above ``high`` to the first below ``low``.  The mean includes the closing frame; a series
-    without any is one segment of confidence 0.5.  Needs low <= high."""
+    without any is one segment of confidence 0.5.  Needs low <= high.
+
+    A series is worked through in blocks of ``block`` frames; a block is known by its last crossing.
+    """
     if low > high:
         raise ValueError("low must not exceed high")
-    w = _order(part, i)
-    on = F.coalesce(
-        F.last(
-            F.when(F.col(m) > high, 1).when(F.col(m) < low, 0), True
-        ).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.lit(0),
+    cut = df.withColumn("_block", F.floor(F.col(i) / block)).withColumn(
+        "_sign", F.when(F.col(m) > high, 1).when(F.col(m) < low, 0)
     )
-    s = df.withColumn("_on", on).withColumn("_n", F.max(i).over(Window.partitionBy(part)) + 1)
-    s = s.withColumn("_in", (F.col("_on") == 1) | (F.coalesce(F.lag("_on").over(w), F.lit(0)) == 1))
-    starts = F.when((F.col("_on") == 1) & (F.coalesce(F.lag("_on").over(w), F.lit(0)) == 0), 1).otherwise(0)
-    s = s.withColumn("_k", F.sum(starts).over(w))
-    found = s.filter("_in").groupBy(part, "_k").agg(
+    last = cut.groupBy(part, "_block").agg(F.max_by("_sign", F.when(F.col("_sign").isNotNull(), F.col(i))).alias("_last"))
+    earlier = Window.partitionBy(part).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    entering = last.select(part, "_block", F.coalesce(F.last("_last", True).over(earlier), F.lit(0)).alias("_enters"))
+    w = Window.partitionBy(part, "_block").orderBy(i)
+    s = _of_blocks(cut, entering, part)
+    on = F.coalesce(F.last("_sign", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_enters")
+    s = s.withColumn("_on", on)
+    s = s.withColumn("_was", F.coalesce(F.lag("_on").over(w), "_enters"))
+    s = s.withColumn("_starts", F.when((F.col("_on") == 1) & (F.col("_was") == 0), 1).otherwise(0))
+    s = _running(s, "_starts", "_k", part, [i]).filter("_on = 1 or _was = 1")
+    found = s.groupBy(part, "_k").agg(
         F.min(i).alias("start_frame"), F.max(F.when(F.col("_on") == 1, F.col(i))).alias("_last"),
         F.avg(m).alias("motion_magnitude"),
     )
