@@ -58,22 +58,6 @@ def _of_blocks(df: DataFrame, found: DataFrame, part: str) -> DataFrame:
     return df.join(held, F.col(part).eqNullSafe(F.col("_p")) & F.col("_block").eqNullSafe(F.col("_pb"))).drop("_p", "_pb")
 
 
-def _beside(df: DataFrame, columns: list[str], part: str, order: list[str]) -> DataFrame:
-    """df (cut into _block) with _prev and _next, structs of the neighbouring rows' columns, null at the ends of a series.
-
-    Neighbours are found inside blocks; what lies beyond a block's ends comes from one row a block.
-    """
-    value = F.struct(*(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)), *columns)
-    inside = Window.partitionBy(part, "_block").orderBy(*order)
-    ends = df.withColumn("_v", value).groupBy(part, "_block").agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    by = Window.partitionBy(part).orderBy("_block")
-    ends = ends.select(part, "_block", F.lag("_high").over(by).alias("_earlier"), F.lead("_low").over(by).alias("_later"))
-    both = _of_blocks(df.withColumn("_v", value), ends, part)
-    return both.withColumns(
-        {"_prev": F.coalesce(F.lag("_v").over(inside), "_earlier"), "_next": F.coalesce(F.lead("_v").over(inside), "_later")}
-    ).drop("_v", "_earlier", "_later")
-
-
 def _running(df: DataFrame, value: str, name: str, part: str, order: list[str]) -> DataFrame:
     """df (cut into _block) with the sum of a column up to each row of its series: inside the block, and over the blocks before."""
     inside = Window.partitionBy(part, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -89,22 +73,37 @@ def motion(
     """Distance, speed and heading from the row before, and the distance so far; the first row has 0, 0 and the second's heading.
 
     Rows of one time are in the order of ``tie``, without it of their coordinates.  A series is worked through in
-    blocks of ``block`` seconds.
+    blocks of ``block`` seconds; a block is known by its first and last fix and the way between them, one row a block.
     """
     order = [t, *([tie] if tie else ["lat", "lon"])]
-    names = df.columns
-    near = _beside(df.withColumn("_block", F.floor(F.col(t) / block)), ["lat", "lon"], part, order)
-    lat, lon, prev, after = F.col("lat"), F.col("lon"), F.col("_prev"), F.col("_next")
-    step = F.coalesce(geo.haversine(prev["lat"], prev["lon"], lat, lon), F.lit(0.0))
-    head = F.coalesce(
-        geo.bearing(prev["lat"], prev["lon"], lat, lon), geo.bearing(lat, lon, after["lat"], after["lon"]), F.lit(0.0)
+    own = F.struct(*(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)), "lat", "lon")
+    way = lambda a, b: geo.haversine(a["lat"], a["lon"], b["lat"], b["lon"])
+    course = lambda a, b: geo.bearing(a["lat"], a["lon"], b["lat"], b["lon"])
+    v, before, after = F.col("_v"), F.col("_prev"), F.col("_next")
+    w = Window.partitionBy(part, "_block").orderBy(*order)
+    cut = df.withColumn("_block", F.floor(F.col(t) / block)).withColumn("_v", own)
+    cut = cut.withColumns({"_prev": F.lag("_v").over(w), "_next": F.lead("_v").over(w)})
+    cut = cut.withColumn("_step", F.coalesce(way(before, v), F.lit(0.0)))
+    ends = cut.groupBy(part, "_block").agg(
+        F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_step").alias("_inside")
     )
-    dt = F.greatest(F.col(t) - prev["_o0"], F.lit(1e-6))
-    out = near.withColumn("distance_m", step)
-    out = out.withColumn("speed_kmh", F.coalesce(F.col("distance_m") / dt * 3.6, F.lit(0.0))).withColumn("heading", head)
-    out = _running(out, "distance_m", "total_m", part, order)
-    new = ["distance_m", "speed_kmh", "heading", "total_m"]
-    return out.select(*(c for c in names if c not in new), *new)
+    by = Window.partitionBy(part).orderBy("_block")
+    ends = ends.withColumns({"_earlier": F.lag("_high").over(by), "_later": F.lead("_low").over(by)})
+    ends = ends.withColumn("_edge", F.coalesce(way(F.col("_earlier"), F.col("_low")), F.lit(0.0)))
+    ends = ends.withColumn("_sum", F.col("_inside") + F.col("_edge"))
+    base = (_before("_sum", part) + F.col("_edge")).alias("_base")
+    near = _of_blocks(cut, ends.select(part, "_block", "_earlier", "_later", base, "_edge"), part)
+    inside = F.sum("_step").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    near = near.withColumn("_total", F.col("_base") + inside).withColumn(
+        "_way", F.when(before.isNull(), F.col("_edge")).otherwise(F.col("_step"))
+    )
+    near = near.withColumns({"_prev": F.coalesce("_prev", "_earlier"), "_next": F.coalesce("_next", "_later")})
+    dt = F.greatest(F.col(t) - before["_o0"], F.lit(1e-6))
+    new = {
+        "distance_m": F.col("_way"), "speed_kmh": F.coalesce(F.col("_way") / dt * 3.6, F.lit(0.0)),
+        "heading": F.coalesce(course(before, v), course(v, after), F.lit(0.0)), "total_m": F.col("_total"),
+    }
+    return near.select(*(c for c in df.columns if c not in new), *(x.alias(c) for c, x in new.items()))
 
 
 def stationary(
@@ -113,26 +112,37 @@ def stationary(
 ) -> DataFrame:
     """is_stationary: rows of a run below the speed that lasts ``seconds``; segment_id grows at each start of moving.
 
-    Runs are numbered over blocks of ``block`` seconds and their ends pre-aggregated, so neither a long series nor a
-    long run is one task.
+    Runs are numbered over blocks of ``block`` seconds, of which one row each passes a window of the series, and then
+    pre-aggregated, so that neither a long series nor a long run is one task; one row a run passes such a window too.
     """
     order = [t, *([tie] if tie else [speed])]
     names = [c for c in df.columns if c not in ("is_stationary", "segment_id")]
-    slow = df.withColumn("_slow", F.col(speed) < below).withColumn("_block", F.floor(F.col(t) / block))
-    near = _beside(slow, ["_slow"], part, order).withColumn("_was", F.col("_prev._slow")).drop("_prev", "_next")
-    flips = near.withColumn("_flip", F.when(F.col("_slow") != F.col("_was"), 1).otherwise(0))
-    runs = _running(flips, "_flip", "_run", part, order)
-    spans = runs.groupBy(part, "_run").agg((F.max(t) - F.min(t) >= seconds).alias("_long"))
-    first = spans.select(F.col(part).alias("_p"), F.col("_run").alias("_r"), "_long")
-    earlier = spans.select(F.col(part).alias("_q"), (F.col("_run") + 1).alias("_s"), F.col("_long").alias("_long_before"))
-    told = first.join(earlier, F.col("_p").eqNullSafe(F.col("_q")) & (F.col("_r") == F.col("_s")), "left")
-    told = told.select("_p", "_r", "_long", "_long_before")
-    marked = runs.join(told, F.col(part).eqNullSafe(F.col("_p")) & (F.col("_run") == F.col("_r"))).drop("_p", "_r")
-    marked = marked.withColumn("is_stationary", F.col("_slow") & F.col("_long"))
-    # a run that isn't slow, after one that was stationary
-    begins = (F.col("_flip") == 1) & F.col("_was") & F.col("_long_before")
-    marked = marked.withColumn("_starts", F.when(begins, 1).otherwise(0))
-    return _running(marked, "_starts", "segment_id", part, order).select(*names, "is_stationary", "segment_id")
+    w = Window.partitionBy(part, "_block").orderBy(*order)
+    place = F.struct(*(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)))
+    turned = lambda a, b: F.when(F.col(a) != F.col(b), 1).otherwise(0)
+    cut = df.withColumn("_slow", F.col(speed) < below).withColumn("_block", F.floor(F.col(t) / block))
+    cut = cut.withColumn("_was", F.lag("_slow").over(w)).withColumn("_flip", turned("_slow", "_was"))
+    ends = cut.groupBy(part, "_block").agg(
+        F.min_by("_slow", place).alias("_low"), F.max_by("_slow", place).alias("_high"), F.sum("_flip").alias("_inside")
+    )
+    by = Window.partitionBy(part).orderBy("_block")
+    ends = ends.withColumn("_earlier", F.lag("_high").over(by)).withColumn("_edge", turned("_low", "_earlier"))
+    ends = ends.withColumn("_sum", F.col("_inside") + F.col("_edge"))
+    ends = ends.select(part, "_block", (_before("_sum", part) + F.col("_edge")).alias("_base"))
+    inside = F.sum("_flip").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    runs = _of_blocks(cut.withColumn("_own", inside), ends, part).withColumn("_run", F.col("_base") + F.col("_own"))
+    spans = runs.groupBy(part, "_run").agg((F.max(t) - F.min(t) >= seconds).alias("_long"), F.max("_slow").alias("_any"))
+    over = Window.partitionBy(part).orderBy("_run")
+    # a run that isn't slow, after one that was stationary: runs take turns
+    begins = F.when((F.col("_run") > 0) & ~F.col("_any") & F.lag("_long").over(over), 1).otherwise(0)
+    told = spans.withColumn("_begins", begins).withColumn(
+        "segment_id", F.sum("_begins").over(over.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    told = told.select(F.col(part).alias("_p"), F.col("_run").alias("_r"), "_long", "segment_id")
+    marked = runs.select(*names, "_slow", "_run").join(
+        told, F.col(part).eqNullSafe(F.col("_p")) & (F.col("_run") == F.col("_r"))
+    )
+    return marked.select(*names, (F.col("_slow") & F.col("_long")).alias("is_stationary"), "segment_id")
 
 
 def _neighbours(
