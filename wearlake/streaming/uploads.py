@@ -119,17 +119,41 @@ def uploads(
 
 
 def settled(records: DataFrame, waits: tuple[float, ...] = WAITS, patience: float = 60.0, keep: float = 86400.0) -> DataFrame:
-    """The transitions of a recorded stream, after all its timers have rung: a group is one chunk's records."""
+    """The transitions of a recorded stream, after all its timers have rung.
 
-    def run(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
-        chunk = Upload(waits=waits, patience=patience, keep=keep)
-        for kind, attempt, at in _ordered(p):
-            chunk.hear(kind, attempt, at)
-        chunk.ring(_END - 1)
-        return _frame(key, chunk.made)
+    Records are sorted in partitions by chunk and time, and one chunk's state is carried along at a time.
+    """
 
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, chunk, made = None, None, []
+
+        def take() -> None:
+            made.extend((*key, *m) for m in chunk.made)
+            chunk.made.clear()
+
+        for p in parts:
+            for *own, kind, attempt, at in p.itertuples(index=False, name=None):
+                if own != key:
+                    if chunk is not None:
+                        chunk.ring(_END - 1)
+                        take()
+                    key, chunk = own, Upload(waits=waits, patience=patience, keep=keep)
+                chunk.hear(kind, attempt, at)
+                take()
+            yield pd.DataFrame(made, columns=["session_id", "chunk_index", "attempt", "status", "ms"])
+            made.clear()
+        if chunk is not None:
+            chunk.ring(_END - 1)
+            take()
+            yield pd.DataFrame(made, columns=["session_id", "chunk_index", "attempt", "status", "ms"])
+
+    key = ["session_id", "chunk_index"]
     whole = records.filter("session_id is not null and chunk_index is not null and at is not null")
-    return whole.groupBy("session_id", "chunk_index").applyInPandas(run, _OUT)
+    order = F.when(F.col("kind") == "queued", 0).when(F.col("kind") == "ok", 1).when(F.col("kind") == "error", 2).otherwise(3)
+    rows = whole.select(*key, F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("attempt", F.lit(0)).alias("attempt"), F.unix_millis("at").alias("ms"), order.alias("_kind"))
+    dealt = rows.repartition(*key).sortWithinPartitions(*key, "ms", "_kind", "attempt").drop("_kind")
+    told = dealt.mapInPandas(run, "session_id string, chunk_index int, attempt int, status string, ms long")
+    return told.select(*key, "attempt", "status", F.timestamp_millis("ms").alias("at"))
 
 
 def latest_status(transitions: DataFrame) -> DataFrame:
