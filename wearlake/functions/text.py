@@ -124,29 +124,6 @@ def instructions(text: Column, action_type: Column) -> tuple[Column, Column]:
     return F.when(said, text).otherwise(pick(0)), F.when(said, hint(text, action_type)).otherwise(pick(1))
 
 
-def md5_slot(bigram: Column, capacity: int) -> Column:
-    """The 128-bit MD5 modulo ``capacity``, by 32-bit limbs."""
-    digest = F.md5(bigram)
-    value = F.lit(0).cast("long")
-    for k in range(4):
-        limb = F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("long")
-        value = (value * (2**32 % capacity) + limb) % capacity
-    return value
-
-
-def embed_terms(text: Column) -> Column:
-    """Array of slots of a text's vocabulary words and character bigrams, with repeats."""
-    size = len(VOCABULARY)
-    index = F.create_map(*(F.lit(x) for k, w in enumerate(VOCABULARY) for x in (w, k)))
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
-    words = F.filter(F.transform(tokens, lambda t: index[t].cast("long")), lambda x: x.isNotNull())
-    grams = lambda t: F.when(
-        F.length(t) > 1, F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda j: F.substring(t, j, F.lit(2)))
-    ).otherwise(F.array().cast("array<string>"))
-    pairs = F.flatten(F.transform(tokens, grams))
-    return F.concat(words, F.transform(pairs, lambda b: md5_slot(b, DIMENSIONS - size) + size))
-
-
 def code_points(text: Column, length: int, modulus: int = 32_000) -> Column:
     """Code points modulo ``modulus`` of the first ``length`` characters, zero-padded."""
     text = F.coalesce(text, F.lit(""))

@@ -53,17 +53,9 @@ def frames_in(segments: DataFrame, frames: DataFrame, part: str = "session") ->
     return wide.join(frames, [part, "frame"])
 
 
-def window_samples(samples: DataFrame, start: str, count: int, column: str = "samples") -> DataFrame:
-    """``count`` samples from index ``start`` (negative: from 0), zero-padded, in ``window``."""
-    at = F.greatest(F.col(start), F.lit(0)) + 1
-    return samples.withColumn(
-        "window", F.slice(F.concat(F.slice(column, at, count), F.array_repeat(F.lit(0.0), count)), 1, count)
-    )
-
-
 def window_rows(frames: DataFrame, order: str, value: str, count: int, part: str = "session") -> DataFrame:
-    """``count`` values from each row on in the order of its series, zero-padded, in ``window``: window_samples where
-    each row is a sample, without an array of the whole series at every row."""
+    """``count`` values from each row on in the order of its series, zero-padded, in ``window``: each row is a sample,
+    and no array of the whole series stands at every row."""
     w = Window.partitionBy(part).orderBy(order)
     return frames.withColumn(
         "window", F.array(*(F.col(value) if k == 0 else F.lead(value, k, 0.0).over(w) for k in range(count)))

@@ -19,7 +19,7 @@ _TEXTS = 1000
 
 
 def embed_term_counts(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(key, slot, n) of each row's whole text: how often its terms, those of tx.embed_terms, fall on a slot."""
+    """(key, slot, n) of each row's whole text: how often its vocabulary words and character bigrams fall on a slot."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -271,8 +271,3 @@ def parse_nmea(lines: DataFrame, column: str = "line") -> DataFrame:
             ~rmc, at(6).try_cast("int")
         ).alias("fix_quality"), F.when(~rmc, at(7).try_cast("int")).alias("num_satellites"),
     )
-
-
-def wav_header(raw: bytes) -> tuple[int, int]:
-    """(channels, rate) of a WAV without reading its samples."""
-    return struct.unpack_from("<HI", raw, 22)
