@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import math
-import struct
 import wave
 from collections.abc import Iterator
 
