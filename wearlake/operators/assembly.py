@@ -51,9 +51,8 @@ def coverage(
 def absent_chunks(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
     """Chunk numbers expected between first and last but not there."""
     ends = chunks.groupBy(part).agg(F.min(i).alias("a"), F.max(i).alias("b"))
-    return ends.select(
-        part, F.explode(series.numbers(F.col("a"), F.col("b"))).alias(i)
-    ).join(chunks.select(part, i), [part, i], "left_anti")
+    expected = series.numbered(ends, F.col("a"), F.col("b"), i).select(part, i)
+    return expected.join(chunks.select(part, i), [part, i], "left_anti")
 
 
 def common_chunks(left: DataFrame, right: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -121,12 +122,37 @@ def complete_frames(frames: DataFrame, fps: float = 30.0, part: str | tuple[str,
     return frames if "action" in frames.columns else derive_actions(frames, part=part)
 
 
+#: Beside the partitions of written episodes, where Spark's readers of the data don't look: one row an episode.
+LISTING = "_episodes"
+
+
+def describe_episodes(frames: DataFrame, by: tuple[str, ...] = ("session_id", "episode_index")) -> DataFrame:
+    """One row an episode: frames, the first and last timestamp, and the instruction of its first frame that has one
+    (empty if none has)."""
+    order = F.col("frame_index") if "frame_index" in frames.columns else F.lit(0)
+    text, found = F.lit(""), {"frames": F.count("*")}
+    if "instruction" in frames.columns:
+        said = F.nullif("instruction", F.lit(""))
+        text = F.coalesce(F.min_by("instruction", F.when(said.isNotNull(), F.struct(order, said))), F.lit(""))
+    if "timestamp" in frames.columns:
+        found |= {"first_timestamp": F.min("timestamp"), "last_timestamp": F.max("timestamp")}
+    return frames.groupBy(*by).agg(*(v.alias(k) for k, v in found.items()), text.alias("instruction"))
+
+
 def list_episodes(spark: SparkSession, path: str, by: tuple[str, ...] = ("session_id", "episode_index")) -> DataFrame:
-    """(session_id, episode_index, frames, instruction) of written episodes in the order of their index: only the columns
-    needed are read, damaged files are skipped."""
-    rows = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).parquet(path)
-    text = F.first("instruction") if "instruction" in rows.columns else F.lit("")
-    return rows.groupBy(*by).agg(F.count("*").alias("frames"), text.alias("instruction")).orderBy(by[-1], *by[:-1])
+    """(session_id, episode_index, frames, instruction) of written episodes in the order of their index.
+
+    The listing that ``writers.write_episodes`` leaves beside the episodes is read, which costs a row an episode and no
+    row of a frame.  Without one the needed columns of the frames are read and damaged files are skipped.
+    """
+    try:
+        rows = spark.read.parquet(f"{path.rstrip('/')}/{LISTING}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).parquet(path)
+        rows = describe_episodes(rows, by)
+    return rows.select(*by, "frames", "instruction").orderBy(by[-1], *by[:-1])
 
 
 def load_episode(spark: SparkSession, path: str, session_id: str, episode_index: int | None = None) -> DataFrame:
@@ -139,7 +165,7 @@ def load_episode(spark: SparkSession, path: str, session_id: str, episode_index:
 
 def frame_index(episodes: DataFrame, key: str = "path") -> DataFrame:
     """(key, frame) of every frame of episodes with a number of ``frames``, in the order of the key."""
-    return episodes.select(key, F.explode(series.numbers(F.lit(0), F.col("frames") - 1)).alias("frame"))
+    return series.numbered(episodes.select(key, "frames"), F.lit(0), F.col("frames") - 1, "frame").drop("frames")
 
 
 def key_frames(segments: DataFrame, most: int, part: str = "session") -> DataFrame:
@@ -154,9 +180,8 @@ def even_frames(lengths: DataFrame, most: int, part: str = "session") -> DataFra
     """Without segments: every max(1, n_frames // most)-th frame, the first ``most`` of them."""
     step = F.greatest(F.lit(1), F.floor(F.col("n_frames") / most))
     last = F.least(F.floor((F.col("n_frames") - 1) / step), F.lit(most - 1))
-    return lengths.select(
-        part, F.explode(F.transform(series.numbers(F.lit(0), last), lambda k: (k * step).cast("long"))).alias("frame")
-    )
+    placed = lengths.select(part, step.cast("long").alias("_step"), last.alias("_last"))
+    return series.numbered(placed, F.lit(0), F.col("_last"), "_k").select(part, (F.col("_k") * F.col("_step")).alias("frame"))
 
 
 def best_checkpoint(runs: DataFrame, part: str = "run", loss: str = "val_loss", order: str = "epoch") -> DataFrame:

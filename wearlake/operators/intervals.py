@@ -14,8 +14,8 @@ def overlaps(left: DataFrame, right: DataFrame, width: float, part: str = "sessi
     Both sides go to all buckets of ``width`` they touch; a pair counts in the
     bucket where its overlap begins.
     """
-    cells = lambda df, a, b: df.withColumn(
-        "_cell", F.explode(series.numbers(F.floor(F.col(a) / width), F.floor(F.greatest(F.col(a), F.col(b)) / width)))
+    cells = lambda df, a, b: series.numbered(
+        df, F.floor(F.col(a) / width), F.floor(F.greatest(F.col(a), F.col(b)) / width), "_cell"
     )
     pairs = cells(left, "l_start", "l_end").join(cells(right, "r_start", "r_end"), [part, "_cell"])
     begin = F.greatest("l_start", "r_start")
@@ -47,9 +47,7 @@ def best_overlap(
 
 def frames_in(segments: DataFrame, frames: DataFrame, part: str = "session") -> DataFrame:
     """Frames of each half-open segment, as an equi-join on the frame number."""
-    wide = segments.filter("end_frame > start_frame").withColumn(
-        "frame", F.explode(series.numbers(F.col("start_frame"), F.col("end_frame") - 1))
-    )
+    wide = series.numbered(segments, F.col("start_frame"), F.col("end_frame") - 1, "frame")
     return wide.join(frames, [part, "frame"])
 
 
@@ -65,7 +63,7 @@ def window_rows(frames: DataFrame, order: str, value: str, count: int, part: str
 def sample_blocks(audio: DataFrame, size: int = 16_000, part: str = "session", samples: str = "samples") -> DataFrame:
     """(part, block, samples): arrays of samples cut into blocks of ``size``."""
     cut = F.transform(
-        series.numbers(F.lit(0), F.floor((F.size(samples) - 1) / size)),
+        F.sequence(F.lit(0), F.floor((F.greatest(F.size(samples), F.lit(1)) - 1) / size).cast("int")),
         lambda k: F.slice(samples, (k * size + 1).cast("int"), size),
     )
     return audio.select(part, F.posexplode(F.filter(cut, lambda x: F.size(x) > 0)).alias("block", "samples"))
@@ -81,9 +79,8 @@ def block_windows(
     each of its rows.
     """
     at = F.greatest(F.col(start), F.lit(0)).cast("long")
-    wide = rows.select(*key, at.alias("_at")).withColumn(
-        "block", F.explode(series.numbers(F.floor(F.col("_at") / size), F.floor((F.col("_at") + count - 1) / size)))
-    )
+    begun = rows.select(*key, at.alias("_at"))
+    wide = series.numbered(begun, F.floor(F.col("_at") / size), F.floor((F.col("_at") + count - 1) / size), "block")
     first = F.greatest(F.col("_at") - F.col("block") * size, F.lit(0))
     end = F.least(F.col("_at") + count - F.col("block") * size, F.lit(size))
     parts = wide.join(blocks, [part, "block"]).select(

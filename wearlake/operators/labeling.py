@@ -13,9 +13,8 @@ ANNOTATION = "array<struct<from_name:string,type:string,value:struct<choices:arr
 
 
 def blend(action: Column, motion: Column, gps: Column) -> Column:
-    """0.4, 0.3 and 0.3 of the confidences, rounded half even on the binary sum as Python does: through exact decimals."""
-    value = (F.lit(0.4) * action + F.lit(0.3) * motion + F.lit(0.3) * gps)
-    return F.bround(value.cast("decimal(38,20)"), 2).cast("double")
+    """0.4, 0.3 and 0.3 of the confidences, rounded to 2 places on the exact binary sum, as Python does."""
+    return formats.fixed(F.lit(0.4) * action + F.lit(0.3) * motion + F.lit(0.3) * gps, 2).cast("double")
 
 
 def auto_label(segments: DataFrame, default: str = "other") -> DataFrame:

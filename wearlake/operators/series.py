@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from wearlake.functions import formats, geo
 
 
-#: Most elements of a series of numbers that is written out; a damaged number would ask for more.
-MOST_NUMBERS = 10_000_000
+#: Numbers that one row writes out at a time.
+RUN = 16_384
 
 
 def _order(part: str, t: str, tie: str | None = None):
     return Window.partitionBy(part).orderBy(t, *([tie] if tie else []))
 
 
-def numbers(first: Column, last: Column, most: int = MOST_NUMBERS) -> Column:
-    """The whole numbers from ``first`` to ``last``, none if that is less; over ``most`` of them is an error, not an array."""
-    a, b = first.cast("long"), last.cast("long")
-    wrong = F.raise_error(
-        F.concat(F.lit("a range of numbers is too long: "), a.cast("string"), F.lit(" to "), b.cast("string"))
-    ).cast("array<bigint>")
-    return F.when(b < a, F.array().cast("array<bigint>")).when(
-        b - a < most, F.sequence(a, F.greatest(a, b))
-    ).otherwise(wrong)
+def numbered(df: DataFrame, first: Column, last: Column, name: str, run: int = RUN, spread: bool = False) -> DataFrame:
+    """df once for each whole number from ``first`` to ``last``, which becomes ``name``; none where that is less or null.
+
+    Numbers are written out in runs of ``run``, so that a long range is never one array; with ``spread`` the runs of a
+    range go to different tasks.
+    """
+    low, high, k = F.col("_low"), F.col("_high"), F.col("_run")
+    runs = df.withColumns({"_low": first.cast("long"), "_high": last.cast("long")}).filter(low <= high)
+    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((high - low) / run))))
+    if spread:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        runs = runs.repartition(tasks, F.xxhash64("_low", "_high", "_run", *df.columns))
+    one = F.sequence(low + k * run, F.least(low + k * run + run - 1, high))
+    return runs.withColumn(name, F.explode(one)).drop("_low", "_high", "_run")
 
 
 #: Seconds of a block into which a series is cut, so that a long one isn't one task.
@@ -206,9 +211,7 @@ def grid(df: DataFrame, step: float, part: str = "session", t: str = "t", closed
     """Times from the first sample every ``step``; closed: until the last one is reached or passed, else before it."""
     ends = df.groupBy(part).agg(F.min(t).alias("_a"), F.max(t).alias("_b"))
     n = F.ceil((F.col("_b") - F.col("_a")) / step).cast("long") + (1 if closed else 0)
-    return ends.withColumn("_k", F.explode(numbers(F.lit(0), n - 1))).select(
-        part, (F.col("_a") + F.col("_k") * step).alias(t)
-    )
+    return numbered(ends, F.lit(0), n - 1, "_k", spread=True).select(part, (F.col("_a") + F.col("_k") * step).alias(t))
 
 
 def first_by_time(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -254,9 +257,22 @@ def peak(df: DataFrame, column: str, part: str = "session", least: float = 1e-8)
     return both.select(*df.columns, scaled.alias(f"{column}_p"))
 
 
-def gaps(df: DataFrame, part: str = "session", t: str = "t") -> DataFrame:
-    """Median and largest time between neighbours of each series."""
-    d = df.withColumn("_d", F.col(t) - F.lag(t).over(_order(part, t)))
+def _preceding(df: DataFrame, value: Column, name: str, part: str, order: list[str], block: float) -> DataFrame:
+    """df with ``value`` of the row before in its series, null at the first: inside blocks of time, and from the last row of
+    the block before, so that a long series isn't one task."""
+    place = F.struct(*(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)))
+    cut = df.withColumn("_block", F.floor(F.col(order[0]) / block)).withColumn("_own", F.struct(value.alias("v")))
+    cut = cut.withColumn("_prev", F.lag("_own").over(Window.partitionBy(part, "_block").orderBy(*order)))
+    ends = cut.groupBy(part, "_block").agg(F.max_by("_own", place).alias("_high"))
+    earlier = F.lag("_high").over(Window.partitionBy(part).orderBy("_block")).alias("_earlier")
+    both = _of_blocks(cut, ends.select(part, "_block", earlier), part)
+    return both.withColumn(name, F.coalesce("_prev", "_earlier")["v"]).drop("_block", "_own", "_prev", "_earlier")
+
+
+def gaps(df: DataFrame, part: str = "session", t: str = "t", block: float = 86_400.0) -> DataFrame:
+    """Median and largest time between neighbours of each series, null for one row."""
+    d = _preceding(df.select(part, t).filter(F.col(t).isNotNull()), F.col(t), "_before", part, [t], block)
+    d = d.withColumn("_d", F.col(t) - F.col("_before"))
     return d.groupBy(part).agg(F.median("_d").alias("median_gap"), F.max("_d").alias("max_gap"))
 
 
@@ -320,39 +336,59 @@ def uniform(df: DataFrame, frames: int, part: str = "session", i: str = "frame",
     )
 
 
-def deltas(df: DataFrame, columns: list[str], first: list[float], part: str = "session", t: str = "t") -> DataFrame:
-    """Differences from the row before; the first row from given values."""
-    w = _order(part, t)
-    return df.select(
-        "*", *((F.col(c) - F.coalesce(F.lag(c).over(w), F.lit(f))).alias(f"d_{c}") for c, f in zip(columns, first))
-    )
-
-
-def train_share(df: DataFrame, order: list[str], share: float = 0.8, ranges: int = 64, sample: int = 2048) -> DataFrame:
+def deltas(
+    df: DataFrame, columns: list[str], first: list[float], part: str = "session", t: str = "t", tie: str | None = None,
+    block: float = 86_400.0,
+) -> DataFrame:
+    """Differences from the row before; the first row from given values.  Rows of one time are in the order of ``tie``,
+    without it of the columns themselves."""
+    order = [t, *([tie] if tie else columns)]
+    near = _preceding(df, F.struct(*columns), "_before", part, order, block)
+    return near.select(
+        *df.columns, *(
+            (F.col(c) - F.coalesce(F.col("_before")[c], F.lit(f))).alias(f"d_{c}") for c, f in zip(columns, first)
+        )
+    )
+
+
+def train_share(
+    df: DataFrame, order: list[str], share: float = 0.8, sample: int = 64, most: int = 1_000_000
+) -> DataFrame:
     """split: the first max(1, int(n * share)) rows in order are train, the rest validation.
 
-    Rows go to key ranges between bounds drawn by hash; only their counts reach the driver, whose prefix sums say how
-    many rows of a range are train.  The rows of a key stay in one range.
+    Only the place of the cut is looked for: bounds drawn by hash divide the keys into ranges, whose counts (at most
+    ``sample``) say which range holds the cut, and that range is divided again until it has ``most`` rows or one key.
+    Rows outside are decided by comparing, those of the last range by numbering them.  Of rows with one key at the cut
+    any may be train.
     """
     names = [f"_o{k}" for k in range(len(order))]
-    keys = df.select(*(F.col(c).alias(n) for c, n in zip(order, names)))
-    drawn = keys.distinct().orderBy(F.xxhash64(*names), *names).limit(sample).orderBy(*names).collect()
-    bounds = drawn[:: -(-len(drawn) // ranges) or 1][1:]
-    kinds = {f.name: f.dataType for f in keys.schema}
-    key = F.struct(*(F.col(c).alias(n) for c, n in zip(order, names)))
-    part = F.lit(0)
-    for b in bounds:
-        part = part + (key >= F.struct(*(F.lit(b[n]).cast(kinds[n]).alias(n) for n in names))).cast("int")
-    ranged = df.withColumn("_range", part)
-    n = dict(ranged.groupBy("_range").count().collect())
-    left, first = max(1, int(sum(n.values()) * share)), {}
-    for r in sorted(n):
-        first[r], left = min(n[r], left), left - min(n[r], left)
-    of = F.create_map(
-        *(F.lit(x) for r, k in first.items() for x in (r, k))
-    ) if first else F.create_map(F.lit(0), F.lit(0))
-    k = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn("split", F.when(k <= of[F.col("_range")], "train").otherwise("val")).drop("_range")
+    keyed = df.withColumn("_key", F.struct(*(F.col(c).alias(n) for c, n in zip(order, names))))
+    kinds = {f.name: f.dataType for f in keyed.schema["_key"].dataType}
+    bound = lambda b: F.struct(*(F.lit(b[n]).cast(kinds[n]).alias(n) for n in names))
+    low, high, n = F.lit(True), F.lit(True), keyed.count()  # the range of the cut, its rows
+    left = max(1, int(n * share))  # rows of it that are train
+    before, after = F.lit(False), F.lit(False)
+    while n > most:
+        inside = keyed.filter(low & high).select("_key")
+        drawn = inside.distinct().orderBy(F.xxhash64("_key"), "_key").limit(sample).orderBy("_key").collect()
+        bounds = [bound(r["_key"]) for r in drawn]
+        at = sum(((F.col("_key") >= b).cast("int") for b in bounds[1:]), F.lit(0))
+        counts = dict(inside.groupBy(at.alias("_at")).count().collect())
+        here = 0
+        while here < len(bounds) - 1 and left > counts.get(here, 0):
+            left -= counts.get(here, 0)
+            here += 1
+        if counts.get(here, 0) == n:
+            break  # one key, or nothing left to divide by
+        n = counts.get(here, 0)
+        if here:
+            low, before = F.col("_key") >= bounds[here], F.col("_key") < bounds[here]
+        if here < len(bounds) - 1:
+            high, after = F.col("_key") < bounds[here + 1], F.col("_key") >= bounds[here + 1]
+    decided = keyed.filter(before | after).withColumn("split", F.when(before, "train").otherwise("val"))
+    k = F.row_number().over(Window.partitionBy("_cut").orderBy("_key"))
+    close = keyed.filter(low & high).withColumn("_cut", F.lit(0)).withColumn("split", F.when(k <= left, "train").otherwise("val"))
+    return decided.unionByName(close.drop("_cut")).drop("_key")
 
 
 def segment_records(segments: DataFrame) -> DataFrame:

@@ -63,6 +63,17 @@ def interp_resample(spark, d):
     return series.interpolate(s, series.grid(s, 3600.0), ["value"], tie="event_id").select("session", *r6("t", "value"))
 
 
+@query(_GRID.replace(" + 1)", ")") + """, p AS (SELECT g.session, g.t, s.t AS pt, s.value AS v, s.magnitude AS m FROM g ASOF LEFT JOIN s ON g.session = s.session AND g.t >= s.t),
+n AS (SELECT g.session, g.t, s.t AS nt, s.value AS v, s.magnitude AS m FROM g ASOF LEFT JOIN s ON g.session = s.session AND g.t <= s.t)
+SELECT p.session, round(p.t, 6) AS t, round(CASE WHEN nt IS NULL OR pt = p.t THEN p.v ELSE p.v + (n.v - p.v) * ((p.t - pt) / (nt - pt)) END, 6) AS value,
+ round(CASE WHEN nt IS NULL OR pt = p.t THEN p.m ELSE p.m + (n.m - p.m) * ((p.t - pt) / (nt - pt)) END, 6) AS magnitude
+FROM p JOIN n ON p.session = n.session AND p.t = n.t""")
+def imu_grid(spark, d):
+    s = st.sensor(spark, d)
+    times = series.grid(s, 3600.0, closed=False)
+    return series.interpolate(s, times, ["value", "magnitude"], tie="event_id").select("session", *r6("t", "value", "magnitude"))
+
+
 @query(_GRID + """ SELECT g.session, round(g.t, 6) AS t, s.kind FROM g ASOF JOIN s ON g.session = s.session AND g.t >= s.t""")
 def asof_ffill(spark, d):
     s = st.sensor(spark, d)
@@ -182,10 +193,10 @@ def median_gap(spark, d):
     return series.gaps(st.sensor(spark, d)).select("session", *r6("median_gap", "max_gap"))
 
 
-@query(f"""WITH {st.SENSOR} SELECT session, event_id, round(value - coalesce(lag(value) OVER w, 0), 6) AS d_value, round(speed - coalesce(lag(speed) OVER w, 1), 6) AS d_speed FROM s WINDOW w AS (PARTITION BY session ORDER BY t)""")
+@query(f"""WITH {st.SENSOR} SELECT session, event_id, round(value - coalesce(lag(value) OVER w, 0), 6) AS d_value, round(speed - coalesce(lag(speed) OVER w, 1), 6) AS d_speed FROM s WINDOW w AS (PARTITION BY session ORDER BY t, event_id)""")
 def quat_delta(spark, d):
     return series.deltas(
-        st.sensor(spark, d), ["value", "speed"], [0.0, 1.0]
+        st.sensor(spark, d), ["value", "speed"], [0.0, 1.0], tie="event_id"
     ).select("session", "event_id", *r6("d_value", "d_speed"))
 
 

@@ -20,13 +20,16 @@ from wearlake.sources import readers
 
 
 def write_episodes(frames: DataFrame, path: str, by: tuple[str, ...] = ("session_id",), fps: float = 30.0) -> None:
-    """Per-frame rows as Parquet partitioned by session (and episode), completed as episodes.complete_frames says.  No rows is an error."""
+    """Per-frame rows as Parquet partitioned by session (and episode), completed as
+    episodes.complete_frames says, and their listing, which episodes.list_episodes reads.  No rows is an error."""
     frames = episodes.complete_frames(frames, fps, by) if "imu" in frames.columns else frames
     if frames.isEmpty():
         raise ValueError("no frames to write")
     frames.repartition(*by).sortWithinPartitions(
         *by, "frame_index"
     ).write.mode("overwrite").partitionBy(*by).parquet(path)
+    written = frames.sparkSession.read.schema(frames.schema).parquet(path)
+    episodes.describe_episodes(written, by).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{episodes.LISTING}")
 
 
 def write_processed(df: DataFrame, path: str) -> None:

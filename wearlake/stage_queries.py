@@ -183,9 +183,8 @@ w AS (SELECT *, {_ACTION} AS a_word, {_SCENARIO} AS s_word FROM k)"""
 
 def _labelled(spark, d) -> DataFrame:
     texts = st.transcripts(spark, d)
-    segs = texts.groupBy("session").agg(F.floor(F.max("ord") / 2).alias("_m")).select(
-        "session", F.explode(series.numbers(F.lit(0), F.col("_m"))).alias("segment")
-    )
+    counts = texts.groupBy("session").agg(F.floor(F.max("ord") / 2).alias("_m"))
+    segs = series.numbered(counts, F.lit(0), F.col("_m"), "segment").select("session", "segment")
     segs = segs.withColumns(
         {
             "start_frame": F.col("segment") * 4, "end_frame": F.col("segment") * 4 + 4,
@@ -208,16 +207,18 @@ def label_segments(spark, d):
     )
 
 
+_SURE = """printf('%.2f', 0.4e0 * CASE WHEN a_word IS NOT NULL THEN 0.85e0 WHEN is_stationary THEN 0.6e0 WHEN motion_level = 'high' THEN 0.5e0 WHEN motion_level = 'medium' THEN 0.4e0 ELSE 0.3e0 END
+ + 0.3e0 * CASE motion_level WHEN 'high' THEN 0.8e0 WHEN 'medium' THEN 0.7e0 ELSE 0.6e0 END + 0.3e0 * gps_conf)::DOUBLE"""
 _COUNTED = lambda c: f"(SELECT string_agg(v || ':' || n, ',' ORDER BY v) FROM (SELECT {c} AS v, count(*) AS n FROM z GROUP BY {c})) AS {c}s"
 
 
-@query(f"""WITH {_SAID}, z AS (SELECT is_stationary, motion_level, coalesce(a_word, CASE WHEN is_stationary THEN 'idle' WHEN motion_level <> 'low' THEN 'navigate' ELSE 'other' END) AS action_type,
+@query(f"""WITH {_SAID}, z AS (SELECT a_word, gps_conf, is_stationary, motion_level, coalesce(a_word, CASE WHEN is_stationary THEN 'idle' WHEN motion_level <> 'low' THEN 'navigate' ELSE 'other' END) AS action_type,
  coalesce(s_word, CASE WHEN speed_kmh > 15 THEN 'driving' WHEN speed_kmh > 3 THEN 'food_delivery' ELSE 'general' END) AS scenario FROM w)
-SELECT count(*) AS total, count(*) FILTER (WHERE is_stationary) AS stationary_count, {_COUNTED('action_type')}, {_COUNTED('scenario')}, {_COUNTED('motion_level')} FROM z""")
+SELECT count(*) AS total, round(avg({_SURE}), 3) AS avg_confidence, count(*) FILTER (WHERE is_stationary) AS stationary_count, {_COUNTED('action_type')}, {_COUNTED('scenario')}, {_COUNTED('motion_level')} FROM z""")
 def label_summary(spark, d):
     flat = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["value"], x["n"])), ",").alias(c)
     return labeling.label_summary(_labelled(spark, d)).select(
-        "total", "stationary_count", flat("action_types"), flat("scenarios"), flat("motion_levels")
+        "total", "avg_confidence", "stationary_count", flat("action_types"), flat("scenarios"), flat("motion_levels")
     )
 
 
