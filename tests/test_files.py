@@ -190,3 +190,17 @@ def test_speech_in_slices(spark):
     parts = spark.createDataFrame([(0.0, 1.25), (1.25, 2.0)], "start double, end double")
     got = transcripts.speech_slices(parts, 10).orderBy("start").collect()
     assert [(r["first_sample"], r["end_sample"]) for r in got] == [(0, 12), (12, 20)]
+
+
+def test_audio_in_place_is_the_joined_audio(spark):
+    rng = np.random.default_rng(8)
+    rows = [("a", k, 8000 if k == 2 else 16_000, rng.normal(size=3 + k).tolist()) for k in (4, 0, 2, 1)]
+    rows += [("b", 7, 8000, [0.0, 0.0]), ("b", 9, 8000, []), (None, 1, 8000, [2.0, -4.0]), ("c", 1, 8000, None)]
+    chunks = spark.createDataFrame(rows, "session string, chunk long, rate int, samples array<double>")
+    whole = {r["session"]: r["samples"] for r in assembly.concat_audio(chunks.filter("size(samples) > 0")).collect()}
+    got = assembly.placed_audio(chunks).collect()
+    for name in ("a", "b", None):
+        own = sorted((r["first"], r["samples"]) for r in got if r["session"] == name)
+        assert [x for _, xs in own for x in xs] == whole[name]
+        assert [f for f, _ in own] == list(np.cumsum([0] + [len(xs) for _, xs in own])[:-1])
+    assert {(r["session"], r["chunk"]) for r in got} == {("a", 0), ("a", 1), ("a", 4), ("b", 7), (None, 1)}

@@ -127,6 +127,28 @@ def concat_audio(chunks: DataFrame, part: str = "session", i: str = "chunk") ->
     )
 
 
+def placed_audio(chunks: DataFrame, part: str = "session", i: str = "chunk") -> DataFrame:
+    """(part, i, rate, first, samples): what ``concat_audio`` joins, left in its chunks: ``first`` is the place of a chunk's
+    first sample in the whole, and samples are scaled to the session's peak of 1.
+
+    Chunks of another rate than the first are left out, as are chunks without samples.  Numbers must differ inside a
+    session.  Only a chunk's length and peak pass a window of the session, so a recording of any length is many tasks.
+    """
+    of = lambda c: F.col(c).alias(f"_{c}")
+    told = chunks.select(
+        of(part), of(i), of("rate"), F.size("samples").cast("long").alias("_n"),
+        F.array_max(F.transform("samples", F.abs)).alias("_peak"),
+    ).filter("_n > 0")
+    w = Window.partitionBy(f"_{part}")
+    rate = F.min_by("_rate", f"_{i}").over(w)
+    told = told.withColumn("_first_rate", rate).filter("_rate = _first_rate")
+    before = F.sum("_n").over(w.orderBy(f"_{i}").rowsBetween(Window.unboundedPreceding, -1))
+    told = told.withColumns({"first": F.coalesce(before, F.lit(0).cast("long")), "_top": F.max("_peak").over(w)})
+    both = chunks.join(told, F.col(part).eqNullSafe(F.col(f"_{part}")) & (F.col(i) == F.col(f"_{i}")))
+    scaled = F.when(F.col("_top") > 0, F.transform("samples", lambda x: x / F.col("_top"))).otherwise(F.col("samples"))
+    return both.select(part, i, "rate", "first", scaled.alias("samples"))
+
+
 def session_name(chunks: DataFrame, fallback: str, part: str = "folder", i: str = "chunk") -> DataFrame:
     """The first non-empty session_id in chunk order, else the fallback column."""
     named = F.min_by(F.nullif("session_id", F.lit("")), F.when(F.nullif("session_id", F.lit("")).isNotNull(), F.col(i)))

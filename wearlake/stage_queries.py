@@ -394,6 +394,20 @@ def assemble_session(spark, d):
     )
 
 
+@query(f"""WITH {st.FRAMES} SELECT session, row_number() OVER (PARTITION BY session ORDER BY frame) - 1 AS place, 16000 AS rate, round(CASE WHEN max(abs(value)) OVER (PARTITION BY session) > 0 THEN value / max(abs(value)) OVER (PARTITION BY session) ELSE value END, 6) AS sample
+ FROM f WHERE (frame // 64) % 5 <> 3""")
+def assembled_audio(spark, d):
+    """Chunks of 64 values; each fifth has another rate and is left out."""
+    chunk = F.floor(F.col("frame") / 64).alias("chunk")
+    held = st.frames(spark, d).groupBy("session", chunk).agg(F.array_sort(F.collect_list(F.struct("frame", "value"))).alias("v"))
+    chunks = held.select(
+        "session", "chunk", F.when(F.col("chunk") % 5 == 3, 8_000).otherwise(16_000).alias("rate"),
+        F.transform("v", lambda x: x["value"]).alias("samples"),
+    )
+    out = assembly.placed_audio(chunks).select("session", "first", "rate", F.posexplode("samples").alias("k", "sample"))
+    return out.select("session", (F.col("first") + F.col("k")).alias("place"), "rate", F.round("sample", 6).alias("sample"))
+
+
 @query(f"WITH {st.CHUNKS} SELECT session, chunk % 50 AS chunk FROM c INTERSECT SELECT session, (chunk + 7) % 45 FROM c")
 def common_chunks(spark, d):
     c = st.chunks(spark, d)
