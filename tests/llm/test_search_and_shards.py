@@ -1,12 +1,14 @@
 """Whitening, sharding and hard negatives against brute force, and awkward inputs."""
 
+import os
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from wearlake.llm import negatives, queries, sharding, whitening
+from wearlake.llm import jaccard, mixing, negatives, queries, sharding, whitening
+from wearlake.llm.runtime import scratch, shared_dir
 
 SMALL = "/root/testdata/sf0.001"
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -216,3 +218,20 @@ def test_labels_are_equal_by_value(spark):
     rows = [(0, [1.0, 0.0], 1.2), (1, [1.0, 0.0], 1.7), (2, [0.9, 0.0], 1.2), (3, [0.7, 0.0], 1.7)]
     got = negatives.hard_negatives(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label double")).toPandas()
     assert [tuple(r)[:4] for r in got.itertuples(index=False)] == [(0, 2, 1, 3)]
+
+
+def test_tables_of_a_scratch_are_deleted(spark):
+    docs = spark.createDataFrame([(k, f"one two three four five six {k % 3}", "s") for k in range(12)], "doc_id long, text string, source string")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with scratch(spark):
+        found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+        with scratch(spark):
+            mixing.mix(docs).collect()
+            inner = set(os.listdir(folder))
+        assert before < set(os.listdir(folder)) < inner
+    assert found == {k: k % 3 for k in range(12)} and set(os.listdir(folder)) == before
+    with pytest.raises(ValueError), scratch(spark):
+        jaccard.jaccard_components(docs)
+        raise ValueError
+    assert set(os.listdir(folder)) == before

@@ -5,11 +5,18 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: The paths of the innermost open ``scratch``.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
@@ -45,6 +52,36 @@ def value_text(df: DataFrame, name: str) -> Column:
     return F.hex(value) if kind == "binary" else value.cast("string")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted by the innermost open ``scratch``."""
+    path, owned = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", _OWNED.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after an error, all tables that operators wrote inside it.
+
+    DataFrames that operators return may read such tables, so results have to be
+    saved or collected inside.  Paths that are gone already are no error.
+    """
+    owned: list[str] = []
+    token = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in owned:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame into the shared folder and read it back.
 
@@ -52,7 +89,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     is kept in ``df.wearlake_path`` for ``discard``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.wearlake_path = path
@@ -64,9 +101,7 @@ def discard(*tables: DataFrame | None) -> None:
     for df in tables:
         path = getattr(df, "wearlake_path", None)
         if path:
-            jvm = df.sparkSession.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:

@@ -19,7 +19,6 @@ Every block is decoded by itself from fresh models.
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wearlake.llm import rangecoder
 from wearlake.llm import textvec as tv
-from wearlake.llm.runtime import shared_dir
+from wearlake.llm.runtime import shared_path
 
 BLOCK_IDS, CHUNK_BLOCKS = rangecoder.BLOCK_IDS, 2048
 #: Bytes of text for each part: about one chunk of ids.
@@ -170,4 +169,4 @@ def read_token_file(spark: SparkSession, path: str, id_col: str = "doc_id", with
 
 def scratch_path(spark: SparkSession) -> str:
     """A new place in the shared folder."""
-    return f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    return shared_path(spark, "tokens")
