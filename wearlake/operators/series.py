@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from wearlake.functions import formats, geo
 
 
-#: Numbers that one row writes out at a time.
-RUN = 16_384
+#: Numbers that one row writes out at a time, and the most runs of a range: more (163 billion numbers) are a damaged end.
+RUN, MOST_RUNS = 16_384, 10_000_000
 
 
 def _order(part: str, t: str, tie: str | None = None):
@@ -20,11 +20,14 @@ def numbered(df: DataFrame, first: Column, last: Column, name: str, run: int = R
     """df once for each whole number from ``first`` to ``last``, which becomes ``name``; none where that is less or null.
 
     Numbers are written out in runs of ``run``, so that a long range is never one array; with ``spread`` the runs of a
-    range go to different tasks.
+    range go to different tasks.  Over ``MOST_RUNS`` runs are an error.
     """
     low, high, k = F.col("_low"), F.col("_high"), F.col("_run")
+    ends = F.concat(F.lit("a range of numbers is too long: "), low.cast("string"), F.lit(" to "), high.cast("string"))
+    count = F.floor((high - low) / run)
+    fits = F.when(count < MOST_RUNS, count).otherwise(F.raise_error(ends).cast("long"))
     runs = df.withColumns({"_low": first.cast("long"), "_high": last.cast("long")}).filter(low <= high)
-    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((high - low) / run))))
+    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), fits)))
     if spread:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         runs = runs.repartition(tasks, F.xxhash64("_low", "_high", "_run", *df.columns))
@@ -358,7 +361,7 @@ def train_share(
 
     Only the place of the cut is looked for: bounds drawn by hash divide the keys into ranges, whose counts (at most
     ``sample``) say which range holds the cut, and that range is divided again until it has ``most`` rows or one key.
-    Rows outside are decided by comparing, those of the last range by numbering them.  Of rows with one key at the cut
+    Rows outside are decided by comparing, those inside by numbering them in the ranges of the last division.  Of rows with one key at the cut
     any may be train.
     """
     names = [f"_o{k}" for k in range(len(order))]
@@ -368,27 +371,32 @@ def train_share(
     low, high, n = F.lit(True), F.lit(True), keyed.count()  # the range of the cut, its rows
     left = max(1, int(n * share))  # rows of it that are train
     before, after = F.lit(False), F.lit(False)
-    while n > most:
+    while True:
         inside = keyed.filter(low & high).select("_key")
         drawn = inside.distinct().orderBy(F.xxhash64("_key"), "_key").limit(sample).orderBy("_key").collect()
         bounds = [bound(r["_key"]) for r in drawn]
         at = sum(((F.col("_key") >= b).cast("int") for b in bounds[1:]), F.lit(0))
         counts = dict(inside.groupBy(at.alias("_at")).count().collect())
+        if n <= most or len(bounds) < 2:
+            break
         here = 0
         while here < len(bounds) - 1 and left > counts.get(here, 0):
             left -= counts.get(here, 0)
             here += 1
-        if counts.get(here, 0) == n:
-            break  # one key, or nothing left to divide by
         n = counts.get(here, 0)
         if here:
             low, before = F.col("_key") >= bounds[here], F.col("_key") < bounds[here]
         if here < len(bounds) - 1:
             high, after = F.col("_key") < bounds[here + 1], F.col("_key") >= bounds[here + 1]
+    train = {}
+    for r in range(max(1, len(bounds))):
+        train[r] = min(left, counts.get(r, 0))
+        left -= train[r]
     decided = keyed.filter(before | after).withColumn("split", F.when(before, "train").otherwise("val"))
-    k = F.row_number().over(Window.partitionBy("_cut").orderBy("_key"))
-    close = keyed.filter(low & high).withColumn("_cut", F.lit(0)).withColumn("split", F.when(k <= left, "train").otherwise("val"))
-    return decided.unionByName(close.drop("_cut")).drop("_key")
+    most_of = F.create_map(*(F.lit(x) for r, rows in train.items() for x in (r, rows)))[F.col("_at")]
+    k = F.row_number().over(Window.partitionBy("_at").orderBy("_key"))
+    close = keyed.filter(low & high).withColumn("_at", at).withColumn("split", F.when(k <= most_of, "train").otherwise("val"))
+    return decided.unionByName(close.drop("_at")).drop("_key")
 
 
 def segment_records(segments: DataFrame) -> DataFrame:
