@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wearlake.operators import catalog, vectorindex
+from wearlake.operators import catalog, geocells, vectorindex
 
 
 @pytest.fixture(scope="module")
@@ -157,3 +157,19 @@ def test_on_a_sphere_it_is_the_haversine(spark, monkeypatch):
     df = spark.createDataFrame([(12.0, 77.0, 13.5, 79.0), (-60.0, 170.0, 61.0, -10.0), (0.0, 0.0, 0.0, 1e-4)], "a double, b double, c double, d double")
     for r in df.select(geo.geodesic(*map(F.col, "abcd")).alias("g"), geo.haversine(*map(F.col, "abcd")).alias("h")).collect():
         assert abs(r.g - r.h) < 1e-5
+
+
+def test_within_measures_each_pair_of_places_once(spark, monkeypatch):
+    measured = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(*_):
+        measured.add(1)
+        return 5.0
+
+    monkeypatch.setattr(geocells.geo, "geodesic", counted)
+    place = [(F.lit(12.0) + F.col("id") % 2 * 1e-4).alias("lat"), (F.lit(77.0) + F.col("id") % 2 * 1e-4).alias("lon")]
+    c, p = spark.range(30).select(F.col("id").alias("centre_id"), *place), spark.range(40).select("id", *place)
+    got = geocells.within(c, p, 100.0).collect()
+    assert len({(r.centre_id, r.id) for r in got}) == len(got) == 30 * 40 and {r.distance_m for r in got} == {5.0}
+    assert measured.value <= 8

@@ -66,22 +66,30 @@ def cell_size(metres: float) -> float:
     return min(30.0, max(0.001, math.degrees(metres / geo.LEAST_RADIUS_M)))
 
 
+def _places(df: DataFrame, *columns: str) -> DataFrame:
+    """The distinct values of columns; of equal doubles one stands for all."""
+    return df.select(*columns).distinct()
+
+
 def within(
     centres: DataFrame, points: DataFrame, metres: float | Column, degrees: float | None = None, centre: str = "centre_id", key: str = "id"
 ) -> DataFrame:
     """(centre, key, distance_m) of all pairs at most ``metres`` apart on the ellipsoid; both have lat and lon.
 
     ``metres`` may be a column of the centres; cells then suit the largest.  Points or centres without a place pair
-    with nothing.  A crowded cell is a join key that Spark may split; points come once, circles in some nine cells.
+    with nothing.  Distances are measured once for each pair of places, of which many rows may share one; only pairs that
+    are near are then written out for their rows.  A crowded cell or place is a join key that Spark may split; places of
+    points come once, circles in some nine cells.
     """
     radius = metres if isinstance(metres, Column) else F.lit(float(metres))
     own = centres.select(F.col(centre), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), radius.alias("_metres"))
     if degrees is None:
         degrees = cell_size(own.agg(F.max("_metres")).first()[0] or 1.0 if isinstance(metres, Column) else float(metres))
-    asked = own.withColumn("_cell", F.explode(cover(F.col("_lat"), F.col("_lon"), F.col("_metres"), degrees)))
-    held = points.select(F.col(key), "lat", "lon", cell(F.col("lat"), F.col("lon"), degrees).alias("_cell")).filter("_cell is not null")
+    asked = _places(own, "_lat", "_lon", "_metres").withColumn("_cell", F.explode(cover(F.col("_lat"), F.col("_lon"), F.col("_metres"), degrees)))
+    held = _places(points, "lat", "lon").withColumn("_cell", cell(F.col("lat"), F.col("lon"), degrees)).filter("_cell is not null")
     pairs = asked.join(held, "_cell")
     far = geo.geodesic(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"))
     # a great circle of the smallest radius of curvature is a cheap lower bound
     near = geo.haversine(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")) * (0.99 * geo.LEAST_RADIUS_M / geo.EARTH_M) <= F.col("_metres")
-    return pairs.filter(near).withColumn("distance_m", far).filter(F.col("distance_m") <= F.col("_metres")).select(centre, key, "distance_m")
+    close = pairs.filter(near).withColumn("distance_m", far).filter(F.col("distance_m") <= F.col("_metres")).drop("_cell")
+    return close.join(own, ["_lat", "_lon", "_metres"]).join(points.select(F.col(key), "lat", "lon"), ["lat", "lon"]).select(centre, key, "distance_m")
