@@ -6,11 +6,12 @@ import re
 from collections import Counter
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from tests.compare import duck, rows
 from wearlake import registry as core
 from wearlake.functions import text as tx
-from wearlake.operators import series
+from wearlake.operators import composites, series
 
 SF = "/root/testdata/sf0.001"
 
@@ -177,3 +178,18 @@ def test_tokens_and_mask(spark, tmp_path):
     assert {r.doc_id: (r.tokens, r.mask) for r in got.itertuples()} == {
         k: (ids(t), mask(t)) for k, t in zip(real.doc_id, real.text)
     }
+
+
+def test_numbers_of_a_small_table_are_not_broadcast(spark):
+    long = series.numbered(spark.range(50), F.lit(0), F.lit(999), "k")
+    both = long.join(spark.range(10_000_000).withColumnRenamed("id", "k"), "k")
+    assert "Broadcast" not in both._jdf.queryExecution().executedPlan().toString() and both.count() == 50_000
+    s = spark.createDataFrame([(k % 3, float(k), 1.0 * k) for k in range(30)], "session long, t double, a double")
+    frames = series.grid(s, 0.5).withColumn("frame", (F.col("t") * 2).cast("long"))
+    pcm = s.groupBy("session").agg(F.collect_list("a").alias("samples")).withColumn("rate", F.lit(1))
+    out = composites.align_streams(frames, s, None, pcm, ("a",), window=2.0, block=4)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = out.collect()
+    assert len(rows) == len({(r.session, r.frame) for r in rows}) == frames.count()
+    at = {(r.session, r.t): list(r.audio) for r in rows}
+    assert at[0, 0.0] == [0.0, 3.0] and at[0, 6.5] == [18.0, 21.0] and at[1, 28.0] == [0.0, 0.0]

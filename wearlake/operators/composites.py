@@ -26,12 +26,12 @@ def align_streams(
     zeros = lambda n: F.array_repeat(F.lit(0.0), n)
     out = frames
     at = series.interpolate(imu, frames, list(imu_columns), part, t, tie=tie)
-    out = out.join(at.select(part, t, F.array(*imu_columns).alias("imu")), [part, t], "left")
+    out = out.join(at.select(part, t, F.array(*imu_columns).alias("imu")).hint("merge"), [part, t], "left")
     if gps is not None:
         sine, cosine = geo.cyclic(F.col("heading"))
         names = ["lat", "lon", "alt", "speed_kmh", "_sin", "_cos"]
         at = series.interpolate(gps.withColumns({"_sin": sine, "_cos": cosine}), frames, names, part, t, tie=tie)
-        out = out.join(at.select(part, t, F.array(*names).alias("gps")), [part, t], "left")
+        out = out.join(at.select(part, t, F.array(*names).alias("gps")).hint("merge"), [part, t], "left")
     else:
         out = out.withColumn("gps", zeros(6))
     blank = lambda c, n: F.transform(F.coalesce(c, zeros(n)), lambda x: F.coalesce(x, F.lit(0.0)))
@@ -41,7 +41,7 @@ def align_streams(
     rate = audio.agg(F.min("rate")).first()[0] or 0
     count = max(1, int(window * rate))
     begin = frames.groupBy(part).agg(F.min(t).alias("_t0")).join(audio.select(part, "rate"), part, "left")
-    placed = out.join(begin, part).withColumn(
+    placed = out.join(begin.hint("merge"), part).withColumn(
         "_first", F.floor(F.coalesce((F.col(t) - F.col("_t0")) * F.col("rate"), F.lit(0.0))).cast("long")
     )
     cut = intervals.block_windows(
@@ -135,4 +135,4 @@ def gps_stage(
     times = series.grid(moved, 1.0 / fps, part, t)
     numbers = series.interpolate(moved, times, ["lat", "lon", "speed_kmh", "heading", "total_m"], part, t, tie=tie)
     kinds = series.as_of(moved, times, ["place_name", "is_stationary", "segment_id"], part, t, tie=tie)
-    return numbers.join(kinds, [part, t])
+    return numbers.join(kinds.hint("merge"), [part, t])

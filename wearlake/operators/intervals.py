@@ -76,20 +76,20 @@ def block_windows(
     """rows with ``window``: ``count`` samples from index ``start`` (negative: from 0), zero-padded; key names a row.
 
     A row meets only the blocks that its window touches, by an equi-join, so that a whole recording is never beside
-    each of its rows.
+    each of its rows; it carries its other columns along, so that rows are made once.
     """
     at = F.greatest(F.col(start), F.lit(0)).cast("long")
-    begun = rows.select(*key, at.alias("_at"))
+    others = [c for c in rows.columns if c not in key]
+    begun = rows.select(*key, F.struct(*others).alias("_row"), at.alias("_at"))
     wide = series.numbered(begun, F.floor(F.col("_at") / size), F.floor((F.col("_at") + count - 1) / size), "block")
     first = F.greatest(F.col("_at") - F.col("block") * size, F.lit(0))
     end = F.least(F.col("_at") + count - F.col("block") * size, F.lit(size))
-    parts = wide.join(blocks, [part, "block"]).select(
-        *key, "block", F.slice("samples", (first + 1).cast("int"), (end - first).cast("int")).alias("_x")
+    parts = wide.join(blocks, [part, "block"], "left").select(
+        *key, "_row", "block", F.slice("samples", (first + 1).cast("int"), (end - first).cast("int")).alias("_x")
     )
-    joined = parts.groupBy(*key).agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "_x"))), lambda b: b["_x"])).alias("_w")
-    )
-    found = rows.join(joined, key, "left")
+    held = F.filter(F.array_sort(F.collect_list(F.struct("block", "_x"))), lambda b: b["_x"].isNotNull())
+    joined = parts.groupBy(*key).agg(F.first("_row").alias("_row"), F.flatten(F.transform(held, lambda b: b["_x"])).alias("_w"))
+    found = joined.select(*(F.col(c) if c in key else F.col("_row")[c].alias(c) for c in rows.columns), "_w")
     whole = F.concat(
         F.coalesce(F.col("_w").cast("array<double>"), F.array().cast("array<double>")),
         F.array_repeat(F.lit(0.0), count),

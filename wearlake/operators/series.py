@@ -20,7 +20,8 @@ def numbered(df: DataFrame, first: Column, last: Column, name: str, run: int = R
     """df once for each whole number from ``first`` to ``last``, which becomes ``name``; none where that is less or null.
 
     Numbers are written out in runs of ``run``, so that a long range is never one array; with ``spread`` the runs of a
-    range go to different tasks.  Over ``MOST_RUNS`` runs are an error.
+    range go to different tasks.  Over ``MOST_RUNS`` runs are an error.  Spark takes the result to be about as large as
+    ``df`` and would broadcast it in a join where only ``df`` is small, so it has the hint ``merge``.
     """
     low, high, k = F.col("_low"), F.col("_high"), F.col("_run")
     ends = F.concat(F.lit("a range of numbers is too long: "), low.cast("string"), F.lit(" to "), high.cast("string"))
@@ -32,7 +33,7 @@ def numbered(df: DataFrame, first: Column, last: Column, name: str, run: int = R
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         runs = runs.repartition(tasks, F.xxhash64("_low", "_high", "_run", *df.columns))
     one = F.sequence(low + k * run, F.least(low + k * run + run - 1, high))
-    return runs.withColumn(name, F.explode(one)).drop("_low", "_high", "_run")
+    return runs.withColumn(name, F.explode(one)).drop("_low", "_high", "_run").hint("merge")
 
 
 #: Seconds of a block into which a series is cut, so that a long one isn't one task.
@@ -179,7 +180,7 @@ def _neighbours(
     earlier = F.last("_high", True).over(by.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     later = F.last("_low", True).over(by.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1))
     ends = ends.select(part, "_block", "_low", earlier.alias("_earlier"), later.alias("_later"))
-    joined = both.filter("_grid = 1").join(ends, [part, "_block"])
+    joined = both.filter("_grid = 1").join(ends.hint("merge"), [part, "_block"])  # see ``numbered``
     following = F.when(F.col("_p").isNotNull(), F.coalesce("_p.next", "_later")).otherwise(F.coalesce("_low", "_later"))
     return joined.select(part, t, F.coalesce("_p.own", "_earlier").alias("_p"), following.alias("_n"))
 
