@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from wearlake.operators import folds, intervals, series
 from wearlake.sources import readers
@@ -116,3 +117,40 @@ def test_sensor_csv(spark, tmp_path):
     ] == [1, 2] and abs(rows[1]["gyro_x"] - math.pi) < 1e-9 and rows[0]["accel_z"] == 0
     with pytest.raises(ValueError):
         readers.read_gps(spark, str(tmp_path / "imu.csv"))
+
+
+def test_many_small_groups_come_in_few_batches():
+    """Groups aren't one call each, wherever batches are cut, and null keys are one group."""
+    p = pd.DataFrame({"s": [None, None, 1, 1, 1, 2, 3, 3, 4, 4, 4, 4], "v": range(12)})
+    for cuts in ([], [1], [3, 4], [5, 6, 8], list(range(1, 12))):
+        got = list(folds.whole_groups(iter([p.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, 12])]), ["s"]))
+        assert pd.concat(got)["v"].tolist() == list(range(12))
+        assert sum(len(folds.group_starts(g, ["s"])) for g in got) == 5 and len(got) <= min(5, len(cuts) + 2)
+
+
+def test_high_pass_of_many_series_is_that_of_each():
+    rng = np.random.default_rng(3)
+    sizes = np.array([10, 11, 500, 64, 1024, 17])
+    x = rng.normal(size=sizes.sum()).cumsum()
+    x[12] = np.nan
+    want = np.concatenate([folds.high_pass(v, 100.0) for v in np.split(x, np.cumsum(sizes)[:-1])])
+    assert np.allclose(folds.high_pass_many(x, sizes, 100.0), want, atol=1e-9, equal_nan=True)
+
+
+def test_small_series_need_no_call_each(spark, monkeypatch):
+    """No operator of short series, segments or recordings runs a Python call a group, but for series of many blocks."""
+    df = spark.range(100).select((F.col("id") % 5).alias("session"), F.col("id").cast("double").alias("t"), F.sin(F.col("id").cast("double")).alias("a"))
+    out = folds.remove_gravity(df, ["a"])
+    got = {(r.session, r.t): r.a_hp for r in out.collect()}
+    for k in range(5):
+        rows = sorted((r.t, r.a) for r in df.filter(F.col("session") == k).collect())
+        want = folds.high_pass(np.array([a for _, a in rows]), 100.0)
+        assert np.allclose([got[k, t] for t, _ in rows], want, atol=1e-9)
+    segments = spark.createDataFrame([(s, 10 * k, 10 * k + 10, 0.5, 1.0 * k) for s in range(4) for k in range(5)], "session long, start_frame long, end_frame long, confidence double, motion_magnitude double")
+    merged = folds.merge_short(segments, 15)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and sorted(tuple(r)[:3] for r in merged.collect()) == [(s, a, b) for s in range(4) for a, b in ((0, 20), (20, 50))]
+    pcm = spark.range(6).select("id", (F.col("id") % 2).alias("session"), F.floor(F.col("id") / 2).alias("block")).select(
+        "session", "block", F.transform(F.sequence(F.lit(1), F.lit(64)), lambda x: x * 1.0).alias("samples"), F.lit(48_000).alias("rate"))
+    rated = folds.resample_blocks(pcm, 16_000)
+    assert "FlatMapGroups" not in rated._jdf.queryExecution().executedPlan().toString() and rated.count() == 6

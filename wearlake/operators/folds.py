@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 
@@ -85,33 +86,62 @@ def kalman(
     return carried(df, columns, [f"{c}_smooth" for c in columns], 4 + 2 * m, step, part, t, tie)
 
 
+def group_starts(p: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Where the groups of rows begin that lie together; nulls are equal."""
+    k = p[keys].astype(object).where(p[keys].notna(), None).to_numpy()
+    return np.concatenate(([0], np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1))
+
+
+def whole_groups(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches of a sorted partition, cut anew so that each holds whole groups only: small groups come many at a time."""
+    held: list[pd.DataFrame] = []
+    for p in parts:
+        if not len(p):
+            continue
+        cut = group_starts(p, keys)[-1]
+        if held and not cut and len(group_starts(pd.concat([held[-1].iloc[-1:], p.iloc[:1]]), keys)) == 1:
+            held.append(p)
+            continue
+        done = [*held, p.iloc[:cut]] if cut else held
+        if done:
+            yield pd.concat(done, ignore_index=True)
+        held = [p.iloc[cut:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def merged(rows: list[tuple], least: int) -> list[tuple]:
+    """Segments (start, end, confidence, magnitude) in order, short ones merged."""
+    size = lambda r: r[1] - r[0]
+    join = lambda a, b: (a[0], b[1], max(a[2], b[2]), (a[3] * size(a) + b[3] * size(b)) / (size(a) + size(b)))
+    again = True
+    while again:
+        again, done, k = False, [], 0
+        while k < len(rows):
+            r, k = rows[k], k + 1
+            if size(r) < least and k < len(rows):
+                r, k, again = join(r, rows[k]), k + 1, True
+            elif size(r) < least and done:
+                r, again = join(done.pop(), r), True
+            done.append(r)
+        rows = done
+    return rows
+
+
 def merge_short(df: DataFrame, least: int = 15, part: str = "session") -> DataFrame:
     """Segments shorter than ``least`` frames join their next neighbour, else the one before, until none changes."""
+    names = ["start_frame", "end_frame", "confidence", "motion_magnitude"]
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        rows = [
-            tuple(r) for r in p.sort_values("start_frame")[
-                ["start_frame", "end_frame", "confidence", "motion_magnitude"]
-            ].itertuples(index=False)
-        ]
-        size = lambda r: r[1] - r[0]
-        join = lambda a, b: (a[0], b[1], max(a[2], b[2]), (a[3] * size(a) + b[3] * size(b)) / (size(a) + size(b)))
-        again = True
-        while again:
-            again, done, queue = False, [], list(rows)
-            while queue:
-                r = queue.pop(0)
-                if size(r) < least and queue:
-                    r, again = join(r, queue.pop(0)), True
-                elif size(r) < least and done:
-                    r, again = join(done.pop(), r), True
-                done.append(r)
-            rows = done
-        out = pd.DataFrame(rows, columns=["start_frame", "end_frame", "confidence", "motion_magnitude"])
-        out.insert(0, part, p[part].iloc[0])
-        return out
-
-    return df.groupBy(part).applyInPandas(
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in whole_groups(parts, [part]):
+            starts = group_starts(p, [part])
+            rows = list(p[names].itertuples(index=False, name=None))
+            made = [merged(rows[a:b], least) for a, b in zip(starts, [*starts[1:], len(p)])]
+            out = pd.DataFrame([r for m in made for r in m], columns=names)
+            out.insert(0, part, p[part].to_numpy()[np.repeat(starts, [len(m) for m in made])])
+            yield out
+
+    return df.select(part, *names).repartition(part).sortWithinPartitions(part, "start_frame").mapInPandas(
         run,
         f"`{part}` {df.schema[part].dataType.simpleString()}, start_frame long, end_frame long, confidence double, motion_magnitude double",
     )
@@ -204,6 +234,54 @@ def high_pass(x: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:
     return once(once(wide)[::-1])[::-1][PAD:-PAD]
 
 
+def high_pass_many(x: np.ndarray, sizes: np.ndarray, rate: float, cut: float = 0.5) -> np.ndarray:
+    """``high_pass`` of series of more than PAD samples that follow each other, in lockstep."""
+    filt, still = high_pass_filter(rate, cut)
+    starts, who = np.cumsum(sizes) - sizes, np.arange(len(sizes))
+    owner, place = np.repeat(who, sizes), np.arange(len(x)) - np.repeat(starts, sizes)
+    total, last = sizes + 2 * PAD, starts + sizes - 1
+    wide = np.zeros((int(total.max()), len(sizes)))
+    wide[PAD + place, owner] = x
+    for k in range(PAD):
+        wide[k] = 2 * x[starts] - x[starts + PAD - k]
+        wide[PAD + sizes + k, who] = 2 * x[last] - x[last - 1 - k]
+
+    def once(v: np.ndarray) -> np.ndarray:
+        out, (p, q) = np.empty_like(v), still[:, None] * v[0]
+        for k, row in enumerate(v):
+            out[k] = filt.b[0] * row + p
+            p, q = filt.gain[0] * row - filt.a[0] * p + q, filt.gain[1] * row - filt.a[1] * p
+        return out
+
+    turned = lambda v: v[np.maximum(total - 1 - np.arange(len(v))[:, None], 0), who]
+    return turned(once(turned(once(wide))))[PAD + place, owner]
+
+
+#: Samples up to which series are filtered in lockstep, and the most numbers of such a block.
+SHORT, LOCKSTEP = 1024, 1_000_000
+
+
+def _high_passed(p: pd.DataFrame, starts: np.ndarray, columns: list[str], rate: float) -> pd.DataFrame:
+    """Whole series in the order of time with <column>_hp; those of up to SHORT samples in blocks of about one length."""
+    sizes = np.diff(np.append(starts, len(p)))
+    order = np.argsort(sizes, kind="stable")
+    few = order[(sizes[order] > PAD) & (sizes[order] <= SHORT)]
+    each = max(1, LOCKSTEP // (SHORT + 2 * PAD))
+    blocks = [few[k : k + each] for k in range(0, len(few), each)]
+    new = {}
+    for c in columns:
+        x = p[c].to_numpy(float)
+        out = x.copy()
+        for block in blocks:
+            n = sizes[block]
+            at = np.repeat(starts[block] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out[at] = high_pass_many(x[at], n, rate)
+        for k in order[sizes[order] > SHORT]:
+            out[starts[k] : starts[k] + sizes[k]] = high_pass(x[starts[k] : starts[k] + sizes[k]], rate)
+        new[f"{c}_hp"] = out
+    return p.assign(**new)
+
+
 def remove_gravity(
     df: DataFrame, columns: list[str], rate: float = 100.0, part: str = "session", t: str = "t", tie: str | None = None,
     size: int = 65_536, block: float = series.BLOCK_S,
@@ -212,10 +290,13 @@ def remove_gravity(
 
     A series is cut into blocks of ``size`` samples (the last one up to twice that).  A block maps the filter's state
     to the state after it, an affine map; the maps are composed over one row a block, once forward and, over what the
-    forward pass gives, once backward, so a series of any length is many tasks.
+    forward pass gives, once backward, so a series of any length is many tasks.  Series of one block, under twice
+    ``size``, are filtered whole, many at a time.
     """
     filt, still = high_pass_filter(rate)
-    own = series.placed(df, part, t, tie, block)
+    counts = df.groupBy(F.col(part).alias("_part")).agg(F.count("*").alias("_rows"))
+    of_length = lambda c: df.join(counts.filter(c), F.col(part).eqNullSafe(F.col("_part"))).select(*df.columns)
+    own = series.placed(of_length(F.col("_rows") >= 2 * size), part, t, tie, block)
     key = [part, "_b"]
     own = own.withColumn("_b", F.least(F.floor(F.col("_i") / size), F.greatest(F.floor(F.col("_n") / size), F.lit(1)) - 1).cast("long"))
     kind = df.schema[part].dataType.simpleString()
@@ -278,8 +359,14 @@ def remove_gravity(
         return p
 
     names = df.columns
-    small = own.filter(F.col("_n") <= PAD)
-    long = own.filter(F.col("_n") > PAD)
+
+    def filtered(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in whole_groups(parts, [part]):
+            yield _high_passed(p, group_starts(p, [part]), columns, rate)
+
+    # up to PAD samples stay; null and NaN are alike in both ways
+    short = of_length(F.col("_rows") < 2 * size).repartition(part).sortWithinPartitions(part, t, *([tie] if tie else []))
+    long = own
     narrow = long.select(*key, "_i", "_n", *columns)
     into = composed(narrow.groupBy(*key).applyInPandas(forward, f"`{part}` {kind}, _b long, count long, {state}"), False)
     ahead = narrow.groupBy(*key).cogroup(into.groupBy(*key)).applyInPandas(backward, f"`{part}` {kind}, _b long, count long, {state}")
@@ -293,7 +380,14 @@ def remove_gravity(
         return finished(p, states, back)[[*names, *(f"{c}_hp" for c in columns)]]
 
     done = long.select(*key, "_i", "_n", *(c for c in names if c != part)).groupBy(*key).cogroup(both.groupBy(*key)).applyInPandas(close, whole)
-    return done.unionByName(small.select(*names, *(F.col(c).cast("double").alias(f"{c}_hp") for c in columns)))
+    return done.unionByName(short.mapInPandas(filtered, whole))
+
+
+@functools.lru_cache(8)
+def _taps(most: int, up: int) -> np.ndarray:
+    k = np.arange(-10 * most, 10 * most + 1)
+    taps = np.sinc(k / most) * np.kaiser(len(k), 5.0)
+    return taps * (up / taps.sum())
 
 
 def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
@@ -303,9 +397,7 @@ def resample(x: np.ndarray, rate: int, to: int) -> np.ndarray:
     if up == down or not len(x):
         return np.asarray(x, float)
     most = max(up, down)
-    k = np.arange(-10 * most, 10 * most + 1)
-    taps = np.sinc(k / most) * np.kaiser(len(k), 5.0)
-    taps *= up / taps.sum()
+    taps = _taps(most, up)
     wide = np.zeros(len(x) * up)
     wide[::up] = x
     return np.convolve(wide, taps)[10 * most :][: len(wide)][::down][: -(-len(x) * up // down)]
@@ -335,27 +427,23 @@ def resample_blocks(
     known = blocks.join(size, F.col(part).eqNullSafe(F.col("_p"))).drop("_p")
     role = lambda k, shift, x: F.struct(F.lit(k).alias("role"), (F.col(block) + shift).alias("b"), x.alias("x"))
     reach = (F.ceil(10 * F.greatest(F.col(rate), F.lit(to)) / F.lit(to)) + 1).cast("int")
-    tail = F.slice(samples, F.greatest(F.size(samples) - reach + 1, F.lit(1)), reach)
+    # a block that isn't full is the last one, with nothing after it
+    tail = F.when(F.size(samples) == F.col("_size"), F.slice(samples, F.greatest(F.size(samples) - reach + 1, F.lit(1)), reach))
     sent = known.withColumn("_s", F.explode(F.array(role(0, 0, F.col(samples)), role(1, 1, tail), role(2, -1, F.slice(samples, F.lit(1), reach)))))
-    sent = sent.select(part, rate, "_size", "_s.*").filter("b >= 0")
+    sent = sent.select(part, rate, "_size", "_s.*").filter("b >= 0 and (role <> 1 or x is not null)")
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        own = {r: np.asarray(x, float) for r, x in zip(p["role"], p["x"])}
-        if 0 not in own:  # beyond the last block
-            return pd.DataFrame({part: [], block: [], "first": [], samples: [], rate: []}, dtype=object)
+    def one(own: dict[int, np.ndarray], q: int, number_of: int, full: int) -> tuple[int, np.ndarray]:
+        """Place of the first and the samples of a block, from itself and what is sent of its neighbours."""
         x, before, after = own[0], own.get(1, np.zeros(0)), own.get(2, np.zeros(0))
-        q, number_of = int(p[rate].iloc[0]), int(p["b"].iloc[0])
         d = math.gcd(q, to)
-        up, down, start = to // d, q // d, number_of * int(p["_size"].iloc[0])
+        up, down, start = to // d, q // d, number_of * full
         most = max(up, down)
         # the outputs whose places lie between this block's first sample and the next block's
         low, high = -(-start * up // down), -(-(start + len(x)) * up // down)
         if up == down:
             made = x
         else:
-            k = np.arange(-10 * most, 10 * most + 1)
-            taps = np.sinc(k / most) * np.kaiser(len(k), 5.0)
-            taps *= up / taps.sum()
+            taps = _taps(most, up)
             around, first = np.concatenate((before, x, after)), start - len(before)
             made = np.zeros(high - low)
             for at in range(0, high - low, 8192):
@@ -366,8 +454,23 @@ def resample_blocks(
                 inside = (tap >= 0) & (tap <= 20 * most) & (which >= first) & (which < first + len(around))
                 values = around[np.clip(which - first, 0, len(around) - 1)] * taps[np.clip(tap, 0, 20 * most)]
                 made[at : at + len(place)] = np.where(inside, values, 0.0).sum(axis=1)
-        return pd.DataFrame({part: [p[part].iloc[0]], block: [number_of], "first": [low], samples: [made.tolist()], rate: [to]})
+        return low, made
 
-    return sent.groupBy(part, "b").applyInPandas(
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in whole_groups(parts, [part, "b"]):
+            starts = group_starts(p, [part, "b"])
+            roles, xs, rates, numbers, full = (p[c].to_numpy() for c in ("role", "x", rate, "b", "_size"))
+            out = []
+            for a, z in zip(starts, [*starts[1:], len(p)]):
+                own = {int(r): np.asarray(x, float) for r, x in zip(roles[a:z], xs[a:z])}
+                if 0 in own:  # else beyond the last block
+                    out.append((a, *one(own, int(rates[a]), int(numbers[a]), int(full[a]))))
+            at = [a for a, _, _ in out]
+            yield pd.DataFrame({
+                part: p[part].to_numpy()[at], block: numbers[at], "first": [low for _, low, _ in out],
+                samples: pd.Series([made for _, _, made in out], dtype=object), rate: to,
+            })
+
+    return sent.repartition(part, "b").sortWithinPartitions(part, "b").mapInPandas(
         run, f"`{part}` {kind}, `{block}` {number}, first long, `{samples}` array<double>, `{rate}` int"
     )
