@@ -178,3 +178,25 @@ def test_channel_sums_add_in_order_without_a_row_of_steps(spark):
     df = spark.createDataFrame(rows, "id long, pixels array<float>").select("*", images.channel_sums(F.col("pixels")).alias("sums"))
     for r in df.collect():
         assert r.sums == (None if r.id == 3 else [sum(r.pixels[k::3], 0.0) for k in range(3)])
+
+
+def test_displacements_of_a_stack_are_those_of_its_pairs(texture):
+    """Fits made once an image and pairs worked through together, against each pair alone and sums over whole windows."""
+    stack = np.stack([shot(texture, 0.5 * k, 1.25 * k, 40) for k in range(4)])
+    down, across = flow.displacements(stack)
+    for k in range(3):
+        d, a = flow.dense(stack[k], stack[k + 1])
+        assert np.allclose(down[k], d, atol=1e-9) and np.allclose(across[k], a, atol=1e-9)
+    means = [np.hypot(down[k], across[k]).mean() for k in range(3)]
+    assert np.isclose(flow.dense_magnitude(list(stack)), np.mean(means))
+    for shape, size in (((5, 9, 4), 7), ((2, 1, 30), 15), ((1, 6, 8), 15)):
+        x = np.random.default_rng(6).random(shape)
+        ones = np.ones(size)
+        assert np.allclose(flow.window_sums(flow.window_sums(x, size, -2), size, -1), flow.separable(x, ones, ones))
+
+
+def test_segments_of_small_frames_are_many_tasks(spark, texture):
+    df = spark.createDataFrame([(s, k, raw(shot(texture, 0, k, 24)), 24, 24, 3) for s in range(6) for k in range(3)], FRAMES)
+    spans = spark.createDataFrame([(s, 0, 3) for s in range(6)], "session long, start_frame long, end_frame long")
+    plan = flow.segment_motion(spans, df)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # tasks that aren't put together by their bytes

@@ -7,6 +7,8 @@ their border frame: a task holds RENEW + 1 frames, however long the session is.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,6 +24,8 @@ POLY, POLY_SIGMA, BOX, DENSE_LEVELS, DENSE_ROUNDS = 5, 1.2, 15, 3, 3
 SAMPLED = 10
 #: The least smaller eigenvalue a pixel of a window that can be tracked, in grey levels squared.
 FLAT = 1e-4
+#: Pixels of the frame pairs whose dense displacement is worked out together.
+PIXELS = 1 << 16
 
 
 def gray(raw: bytes | None, height: int, width: int, channels: int) -> np.ndarray | None:
@@ -32,21 +36,43 @@ def gray(raw: bytes | None, height: int, width: int, channels: int) -> np.ndarra
     return np.rint(x[:, :, :3] @ np.array([0.114, 0.587, 0.299])) if channels >= 3 else x[:, :, 0]
 
 
-def _padded(x: np.ndarray, reach: tuple[int, int]) -> np.ndarray:
-    """Mirrored at the edges without repeating them; a single row or column goes on."""
-    for axis, r in enumerate(reach):
-        ends = [(r, r) if a == axis else (0, 0) for a in range(x.ndim)]
-        x = np.pad(x, ends, mode="reflect" if x.shape[axis] > 1 else "edge")
-    return x
+@lru_cache(maxsize=64)
+def _mirrored(n: int, reach: int) -> np.ndarray:
+    """The places of a row that goes on mirrored at both ends without repeating them; a single place goes on."""
+    return np.pad(np.arange(n), reach, mode="reflect" if n > 1 else "edge")
+
+
+def along(x: np.ndarray, stencil: np.ndarray, axis: int) -> np.ndarray:
+    """The correlation with an odd stencil along one axis, mirrored at the edges."""
+    n, reach = x.shape[axis], len(stencil) // 2
+    p = x.take(_mirrored(n, reach), axis)
+    out = np.zeros(x.shape)
+    for k, w in enumerate(stencil):
+        if w:
+            part = p[(..., slice(k, k + n)) + (slice(None),) * (-1 - axis)]
+            out += part if w == 1 else w * part
+    return out
 
 
 def separable(x: np.ndarray, down: np.ndarray, across: np.ndarray) -> np.ndarray:
-    """The correlation of an image with the product of two odd stencils."""
-    r, s = len(down) // 2, len(across) // 2
-    p = _padded(x, (r, s))
-    high, wide = x.shape
-    rows = sum(w * p[k : k + high] for k, w in enumerate(down))
-    return sum(w * rows[:, k : k + wide] for k, w in enumerate(across))
+    """The correlation of images (their last two axes) with the product of two odd stencils."""
+    return along(along(x, down, -2), across, -1)
+
+
+def window_sums(x: np.ndarray, size: int, axis: int) -> np.ndarray:
+    """Sums of ``size`` (odd) pixels in a row along one axis, mirrored at the edges, from sums of 1, 2, 4 ... pixels."""
+    n = x.shape[axis]
+    own = x.take(_mirrored(n, size // 2), axis)
+    cut = lambda a, first, many: a[(..., slice(first, first + many)) + (slice(None),) * (-1 - axis)]
+    out, at, width = np.zeros(x.shape), 0, 1
+    while at < size:
+        if (size - at) & width:
+            out += cut(own, at, n)
+            at += width
+        if at < size:
+            many = own.shape[axis] - width
+            own, width = cut(own, 0, many) + cut(own, width, many), 2 * width
+    return out
 
 
 def gaussian(size: int, sigma: float) -> np.ndarray:
@@ -84,9 +110,10 @@ def corners(x: np.ndarray) -> np.ndarray:
     best = value.max(initial=0)
     if best <= FLAT * AREA * AREA:
         return np.zeros((0, 2))
-    around = _padded(value, (1, 1))
-    high, wide = value.shape
-    peak = np.max([around[a : a + high, b : b + wide] for a in range(3) for b in range(3)], axis=0)
+    peak = value
+    for axis, n in enumerate(value.shape):
+        around = peak.take(_mirrored(n, 1), axis)
+        peak = np.max([around.take(np.arange(k, k + n), axis) for k in range(3)], axis=0)
     i, j = np.nonzero((value >= QUALITY * best) & (value == peak))
     order = np.lexsort((j, i, -value[i, j]))
     left = np.stack((i[order], j[order]), axis=1).astype(float)
@@ -159,6 +186,12 @@ def block_magnitudes(frames: list[np.ndarray]) -> list[float]:
     return out
 
 
+def _tasks(frames: DataFrame) -> int:
+    """Into how many tasks groups of frames go: small as their bytes may be, their computation isn't, so they are never
+    put together by their bytes."""
+    return int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def magnitudes(frames: DataFrame, part: str = "session", i: str = "frame") -> DataFrame:
     """(session, frame, magnitude) of every frame; 0 for a session's first one.
 
@@ -202,7 +235,7 @@ def magnitudes(frames: DataFrame, part: str = "session", i: str = "frame") -> Da
 
 
 def quadratic(x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(bx, by, axx, ayy, axy) of the fit x' A x + b' x + c around each pixel, weighed by a Gaussian.
+    """(bx, by, axx, ayy, axy) of the fit x' A x + b' x + c around each pixel of images, weighed by a Gaussian.
 
     The moments come from separable stencils, the coefficients from one 6 x 6 system for all pixels.
     """
@@ -212,7 +245,8 @@ def quadratic(x: np.ndarray) -> tuple[np.ndarray, ...]:
     y, xx = (o.ravel() for o in np.meshgrid(at, at, indexing="ij"))
     basis = np.stack((np.ones(y.size), xx, y, xx * xx, y * y, xx * y), axis=1)
     solve = np.linalg.inv(basis.T @ (basis * np.outer(g, g).ravel()[:, None]))
-    moments = np.stack([separable(x, powers[d], powers[a]) for a, d in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1))])
+    rows = [along(x, p, -2) for p in powers]
+    moments = np.stack([along(rows[d], powers[a], -1) for a, d in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1))])
     c = np.tensordot(solve, moments, 1)
     return c[1], c[2], c[3], c[4], c[5] / 2
 
@@ -233,9 +267,32 @@ def _resampling(n: int, m: int) -> np.ndarray:
     return out
 
 
-def dense(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(down, across): the displacement of every pixel, from the quadratic fits of both images, coarse to fine."""
-    high, wide = first.shape
+def _scaled(x: np.ndarray, size: tuple[int, int]) -> np.ndarray:
+    """Images one after another, each as ``resized`` does."""
+    return _resampling(x.shape[1], size[0]) @ x @ _resampling(x.shape[2], size[1]).T
+
+
+def _displaced(fields: list[np.ndarray], down: np.ndarray, across: np.ndarray) -> list[np.ndarray]:
+    """Each field (images one after another) as ``sampled`` gives it at every pixel's place plus its displacement."""
+    high, wide = down.shape[1:]
+    down = np.clip(down + np.arange(high, dtype=float)[:, None], 0, high - 1)
+    across = np.clip(across + np.arange(wide, dtype=float), 0, wide - 1)
+    i, j = np.minimum(down.astype(int), max(high - 2, 0)), np.minimum(across.astype(int), max(wide - 2, 0))
+    u, v = down - i, across - j
+    low, right = wide if high > 1 else 0, 1 if wide > 1 else 0
+    at = (np.arange(len(down))[:, None, None] * high + i) * wide + j
+    places, rest = (at, at + right, at + low, at + low + right), (1 - u, 1 - v)
+    out = []
+    for t in fields:
+        a, b, c, d = (t.take(k) for k in places)
+        out.append((a * rest[1] + b * v) * rest[0] + (c * rest[1] + d * v) * u)
+    return out
+
+
+def displacements(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(down, across) of every pixel of each of n images to the next one, n - 1 of them, from the quadratic fits of the
+    images, coarse to fine.  A fit is made once an image, and all pairs are worked through together."""
+    high, wide = x.shape[1:]
     down = across = None
     for level in range(DENSE_LEVELS - 1, -1, -1):
         size = (round(high / 2**level), round(wide / 2**level))
@@ -244,29 +301,44 @@ def dense(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray
         if level:
             sigma = (2**level - 1) / 2
             g = gaussian(2 * round(2.5 * sigma) + 1, sigma)
-            a, b = (resized(separable(x, g, g), *size) for x in (first, second))
+            own = _scaled(separable(x, g, g), size)
         else:
-            a, b = first, second
+            own = x
         if down is None:
-            down, across = np.zeros(size), np.zeros(size)
+            down, across = (np.zeros((len(x) - 1, *size)) for _ in range(2))
         else:
-            down, across = (resized(d, *size) * n / d.shape[k] for k, (d, n) in enumerate(zip((down, across), size)))
-        one, two = quadratic(a), quadratic(b)
-        y, x = np.mgrid[: size[0], : size[1]].astype(float)
-        box = np.full(BOX, 1.0 / BOX)
+            down, across = (_scaled(d, size) * n / d.shape[k + 1] for k, (d, n) in enumerate(zip((down, across), size)))
+        fits = quadratic(own)
+        one, two = [t[:-1] for t in fits], [t[1:] for t in fits]
         for _ in range(DENSE_ROUNDS):
-            bx, by, axx, ayy, axy = (sampled(t, y + down, x + across) for t in two)
+            bx, by, axx, ayy, axy = _displaced(two, down, across)
             axx, ayy, axy = (one[2] + axx) / 2, (one[3] + ayy) / 2, (one[4] + axy) / 2
             hx = (one[0] - bx) / 2 + axx * across + axy * down
             hy = (one[1] - by) / 2 + axy * across + ayy * down
             xx, yy, xy = axx * axx + axy * axy, ayy * ayy + axy * axy, axy * (axx + ayy)
             rx, ry = axx * hx + axy * hy, axy * hx + ayy * hy
-            xx, yy, xy, rx, ry = (separable(t, box, box) for t in (xx, yy, xy, rx, ry))
+            sums = (window_sums(window_sums(t, BOX, -2), BOX, -1) / BOX**2 for t in (xx, yy, xy, rx, ry))
+            xx, yy, xy, rx, ry = sums
             det = xx * yy - xy * xy + 1e-3
             across, down = (yy * rx - xy * ry) / det, (xx * ry - xy * rx) / det
     return down, across
 
 
+def dense(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(down, across): the displacement of every pixel between two images."""
+    down, across = displacements(np.stack((first, second)))
+    return down[0], across[0]
+
+
+def dense_magnitude(pictures: list[np.ndarray]) -> float:
+    """The mean length of the dense displacement over the pairs of images of one size, PIXELS at a time or one pair."""
+    pairs = max(1, PIXELS // max(1, pictures[0].size))
+    means = []
+    for a in range(0, len(pictures) - 1, pairs):
+        means += np.hypot(*displacements(np.stack(pictures[a : a + pairs + 1]))).mean(axis=(1, 2)).tolist()
+    return float(np.mean(means))
+
+
 def segment_motion(segments: DataFrame, frames: DataFrame, part: str = "session", i: str = "frame") -> DataFrame:
     """segments (session, start_frame, end_frame, ...) with flow_magnitude, motion_level and motion_confidence.
 
@@ -288,11 +360,11 @@ def segment_motion(segments: DataFrame, frames: DataFrame, part: str = "session"
         mean = None
         if whole and len(p) > 1:
             if len({x.shape for x in pictures}) == 1:
-                mean = float(np.mean([np.hypot(*dense(a, b)).mean() for a, b in zip(pictures, pictures[1:])]))
+                mean = dense_magnitude(pictures)
         return p[keys].iloc[:1].assign(flow_magnitude=pd.Series([mean], index=p.index[:1], dtype=float))
 
     kinds = ", ".join(f"`{c}` {asked.schema[c].dataType.simpleString()}" for c in keys)
-    found = held.groupBy(*keys).applyInPandas(run, f"{kinds}, flow_magnitude double")
+    found = held.repartition(_tasks(frames), *keys).groupBy(*keys).applyInPandas(run, f"{kinds}, flow_magnitude double")
     out = segments.join(found, keys, "left").withColumn("flow_magnitude", F.nanvl("flow_magnitude", F.lit(None).cast("double")))
     level, sure = text.motion_level(F.col("flow_magnitude"), F.col("end_frame") - F.col("start_frame"))
     return out.withColumn("motion_level", level).withColumn("motion_confidence", sure)
