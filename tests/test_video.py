@@ -200,3 +200,10 @@ def test_segments_of_small_frames_are_many_tasks(spark, texture):
     spans = spark.createDataFrame([(s, 0, 3) for s in range(6)], "session long, start_frame long, end_frame long")
     plan = flow.segment_motion(spans, df)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan  # tasks that aren't put together by their bytes
+
+
+def test_tracking_is_many_tasks_and_done_once(spark, texture):
+    df = spark.createDataFrame([(s, k, raw(shot(texture, 0, k, 24)), 24, 24, 3) for s in range(6) for k in range(3)], FRAMES)
+    assert flow.magnitudes(df).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = composites.video_segments(df)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" not in plan  # the magnitudes are read, not tracked anew for each use

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wearlake.functions import geo
 from wearlake.operators import flow, folds, intervals, series
+from wearlake.sources.scratch import scratch_path
 
 ACCEL, GYRO = ("accel_x", "accel_y", "accel_z"), ("gyro_x", "gyro_y", "gyro_z")
 
@@ -117,8 +118,14 @@ def flow_segments(
 def video_segments(
     frames: DataFrame, high: float = 3.0, low: float = 1.0, least: int = 15, part: str = "session", i: str = "frame"
 ) -> DataFrame:
-    """Action segments of frames as bytes: tracked corners give each frame's magnitude, these the segments."""
-    return flow_segments(flow.magnitudes(frames, part, i), high, low, least, part, i, "magnitude")
+    """Action segments of frames as bytes: tracked corners give each frame's magnitude, these the segments.
+
+    The magnitudes are read several times, so they are written once under spark.checkpoint.dir.
+    """
+    spark = frames.sparkSession
+    found, path = flow.magnitudes(frames, part, i), scratch_path(spark, "magnitudes")
+    found.write.parquet(path)
+    return flow_segments(spark.read.schema(found.schema).parquet(path), high, low, least, part, i, "magnitude")
 
 
 def gps_stage(

@@ -231,7 +231,8 @@ def magnitudes(frames: DataFrame, part: str = "session", i: str = "frame") -> Da
         out.insert(0, part, p[part].iloc[0])
         return out
 
-    return blocks.groupBy(part, "_block").applyInPandas(run, f"`{part}` {kind[part]}, `{i}` {kind[i]}, magnitude double")
+    spread = blocks.repartition(_tasks(frames), part, "_block")
+    return spread.groupBy(part, "_block").applyInPandas(run, f"`{part}` {kind[part]}, `{i}` {kind[i]}, magnitude double")
 
 
 def quadratic(x: np.ndarray) -> tuple[np.ndarray, ...]:
