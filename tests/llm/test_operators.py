@@ -89,6 +89,35 @@ def test_range_coder():
             rangecoder.encode([np.array(wrong)])
 
 
+def test_coded_bytes_stay():
+    k = np.arange(70_000)
+    ids = (k * k * 31 + k // 7 * 977 + (k % 11) ** 4) % (1 + k % 1500)
+    blocks = [ids[:0], ids[:9], *(ids[a : a + 4096] for a in range(9, len(ids), 4096))]
+    assert zlib.crc32(b"".join(rangecoder.encode(blocks))) == 930930384
+
+
+@pytest.mark.parametrize("kind", [bytebpe.LibraryIds, bytebpe.RankCounter])
+def test_frequent_pieces_outlive_rare_ones(kind, monkeypatch):
+    monkeypatch.setattr(bytebpe, "CACHE_PIECES", 200)
+    held, new = kind(TOK), []
+    add = held.add
+    held.add = lambda data, starts, ends: (
+        new.extend(data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())), add(data, starts, ends)
+    )
+    for k in range(60):
+        texts = [f"the weather isn't fine, {' '.join(f'x{k}y{j}z' for j in range(10))} été\u3000 あ <|endoftext|>", "\x1c \x85"]
+        raw = [t.encode() for t in texts]
+        data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+        want = [_ids(t) for t in texts]
+        if kind is bytebpe.RankCounter:
+            assert held.counts(data, offsets).tolist() == [len(x) for x in want]
+        else:
+            ids, begin = held.encode(data, offsets)
+            assert ids.tolist() == sum(want, []) and np.diff(begin).tolist() == [len(x) for x in want]
+    assert held.keys.size < 300
+    assert new.count(b" weather") == 1  # the table was renewed several times meanwhile
+
+
 def test_chunks_and_damage():
     ids = np.random.default_rng(2).zipf(1.3, 9000).clip(0, 50256)
     payload = tokenfile.pack_chunk([1, None, 3], np.array([600, 0, 8400]), ids)

@@ -4,8 +4,8 @@
 letters, of numbers, of other characters, each with one leading blank, and
 white space) for many texts at once.  ``LibraryIds`` gives ids by the
 tokenizers library, ``RankCounter`` counts symbols by rank-synchronous merging.
-Both keep what they found for a piece in a table that is emptied at a fixed
-size; a piece is found by its hash and then compared byte by byte.  A text that
+Both keep what they found for a piece in a table from which pieces that didn't
+come again are dropped at a fixed size; a piece is found by its hash and then compared byte by byte.  A text that
 holds an added special token is handed to the library whole.  A long text is
 worked through in slices cut where a piece surely begins.
 """
@@ -24,8 +24,10 @@ from wearlake.llm import textvec as tv
 
 _U = np.uint64
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
-#: Pieces kept in a table before it is emptied.
+#: Pieces kept in a table before those that came once since the last time are dropped.
 CACHE_PIECES = 1_000_000
+#: The first two bytes of white space beyond ASCII, and of what lies beside it.
+_SPACE_LEADS = (0xC2, 0x85), (0xC2, 0xA0), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80)
 #: Bytes of a text worked through at once.
 SLICE = 1 << 21
 
@@ -178,6 +180,11 @@ class _Column:
         self.size += len(more)
 
 
+def _ragged(begin: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each of many runs in a row."""
+    return np.repeat(begin - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+
+
 class _Pieces:
     """Distinct pieces in an open hash table, extended in batches.  Pieces with equal hashes are told apart by their bytes."""
 
@@ -187,6 +194,7 @@ class _Pieces:
 
     def clear(self) -> None:
         self.keys, self.words, self.begin_words, self.sizes = _Column(_U), _Column(_U), _Column(np.int64, 1), _Column(np.int64)
+        self.again = _Column(bool)  # pieces that came again after their first block, since the last time of dropping
         self.table = np.full(1 << 21, -1, np.int32)  # more than 4 places a piece
         self.odd: dict[bytes, int] = {}  # pieces whose hash another piece has
 
@@ -222,23 +230,46 @@ class _Pieces:
         """Add pieces; returns their numbers."""
         first = self.keys.size
         self.keys.append(hashes)
+        self.again.append(np.zeros(len(hashes), bool))
         number = np.diff(begin)
-        at = np.repeat(begin[:-1] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
-        self.words.append(words[at])
+        self.words.append(words[_ragged(begin[:-1], number)])
         self.begin_words.append(self.begin_words.all[-1] + np.cumsum(number))
         self.sizes.append(ends - starts)
         self.add(data, starts, ends)
         return np.arange(first, self.keys.size)
 
+    def renew(self) -> None:
+        """Drop the pieces that didn't come again, or all if that leaves more than half of CACHE_PIECES."""
+        stay = self.again.all.copy()
+        stay[list(self.odd.values())] = False
+        stay = np.flatnonzero(stay)
+        if len(stay) > CACHE_PIECES // 2:
+            stay = stay[:0]
+        hashes, sizes, found = self.keys.all[stay], self.sizes.all[stay], self.found(stay)
+        begin = self.begin_words.all[stay]
+        number = self.begin_words.all[stay + 1] - begin
+        words = self.words.all[_ragged(begin, number)]
+        self.clear()
+        self.keys.append(hashes)
+        self.again.append(np.zeros(len(stay), bool))
+        self.words.append(words)
+        self.begin_words.append(np.cumsum(number))
+        self.sizes.append(sizes)
+        self.put_back(*found)
+        while 4 * len(stay) > len(self.table):
+            self.table = np.full(2 * len(self.table), -1, np.int32)
+        self.enter(hashes, np.arange(len(stay), dtype=np.int32))
+
     def resolve(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of each piece; new pieces are added."""
         if self.keys.size > CACHE_PIECES:
-            self.clear()
+            self.renew()
         size = ends - starts
         words, begin = tv.span_words(data, starts, ends)
         hashes = tv.hash_words(words, begin, size)
         slot = self.find(hashes)
         new = np.flatnonzero(slot < 0)
+        self.again.all[slot if not len(new) else slot[slot >= 0]] = True
         if len(new):
             _, where = np.unique(hashes[new], return_index=True)
             pick = np.sort(new[where])
@@ -248,8 +279,7 @@ class _Pieces:
                 self.enter(self.keys.all[plain], plain.astype(np.int32))
             number = begin[pick + 1] - begin[pick]
             own = np.concatenate((np.zeros(1, np.int64), np.cumsum(number)))
-            at = np.repeat(begin[pick] - own[:-1], number) + np.arange(own[-1])
-            added = self.append(hashes[pick], words[at], own, data, starts[pick], ends[pick])
+            added = self.append(hashes[pick], words[_ragged(begin[pick], number)], own, data, starts[pick], ends[pick])
             self.enter(hashes[pick], added.astype(np.int32))
             slot[new] = self.find(hashes[new])
         number = np.diff(begin)
@@ -294,21 +324,38 @@ class LibraryIds(_Pieces):
         super().clear()
         self.begin, self.length, self.flat = _Column(np.int64), _Column(np.int64), _Column(np.uint32)
 
-    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def found(self, stay: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What was found for some pieces, for ``put_back`` once they are numbered anew."""
+        length = self.length.all[stay]
+        return length, self.flat.all[_ragged(self.begin.all[stay], length)]
+
+    def put_back(self, length: np.ndarray, flat: np.ndarray) -> None:
+        self.begin.append(np.cumsum(length) - length)
+        self.length.append(length)
+        self.flat.append(flat)
+
+    def library(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row, and how many each has.
 
         Pieces that begin with a blank and go on with something else are joined,
         since the pattern parts them again where they were joined; a joined text
         that doesn't come back in as many pieces is done piece by piece.
         """
-        joins = [k for k, t in enumerate(texts) if len(t) > 1 and t[0] == " " and not t[1].isspace()]
-        alone = sorted(set(range(len(texts))).difference(joins))
-        flat, sizes, rows = [], np.zeros(len(texts), np.int64), []
+        n, size, most = len(starts), ends - starts, max(len(data) - 1, 0)
+        second, third = data.take(np.minimum(starts + 1, most)), data.take(np.minimum(starts + 2, most))
+        joined = (size > 1) & (data.take(starts) == 32) & (second > 32)
+        for lead, more in _SPACE_LEADS:
+            joined &= (second != lead) | (third != more)
+        joins, alone = np.flatnonzero(joined), [np.flatnonzero(~joined)]
+        raw = data[_ragged(starts[joins], size[joins])].tobytes()
+        upto = np.concatenate(([0], np.cumsum(size[joins])))
+        flat, sizes, rows = [], np.zeros(n, np.int64), []
         groups = [joins[k : k + 256] for k in range(0, len(joins), 256)]
+        cuts = [*upto[:-1:256].tolist(), len(raw)]
         for own, coded in zip(
             groups,
             self.model.library.encode_batch_fast(
-                ["".join(texts[k] for k in own) for own in groups], add_special_tokens=False
+                [raw[x:y].decode() for x, y in zip(cuts[:-1], cuts[1:])] if groups else [], add_special_tokens=False
             ),
         ):
             ids = np.array(coded.ids, np.uint32)
@@ -316,28 +363,25 @@ class LibraryIds(_Pieces):
             if len(heads) == len(own):
                 sizes[own] = np.diff(np.append(heads, len(ids)))
                 flat.append(ids)
-                rows += own
+                rows.append(own)
             else:
-                alone += own
+                alone.append(own)
+        alone = np.concatenate(alone)
         for k in range(0, len(alone), 20_000):  # encodings of a part at a time are kept
             own = alone[k : k + 20_000]
-            ids = [
-                x.ids for x in self.model.library.encode_batch_fast([texts[i] for i in own], add_special_tokens=False)
-            ]
+            texts = [data[x:y].tobytes().decode() for x, y in zip(starts[own].tolist(), ends[own].tolist())]
+            ids = [x.ids for x in self.model.library.encode_batch_fast(texts, add_special_tokens=False)]
             sizes[own] = np.fromiter(map(len, ids), np.int64, len(ids))
             flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(sizes[own].sum())))
-            rows += own
-        found = np.concatenate([np.zeros(0, np.uint32), *flat])
-        begin = np.empty(len(texts), np.int64)
+            rows.append(own)
+        found, rows = np.concatenate([np.zeros(0, np.uint32), *flat]), np.concatenate([alone[:0], *rows])
+        begin = np.empty(n, np.int64)
         begin[rows] = np.cumsum(sizes[rows]) - sizes[rows]
-        upto = np.cumsum(sizes)
-        return found[np.repeat(begin - (upto - sizes), sizes) + np.arange(len(found))], sizes
+        return found[_ragged(begin, sizes)], sizes
 
     def add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = data.tobytes() if len(starts) > 8 else None
-        texts = [(raw[a:b] if raw is not None else data[a:b].tobytes()).decode() for a, b in zip(starts.tolist(), ends.tolist())]
-        for k in range(0, len(texts), 50_000):
-            ids, sizes = self.library(texts[k : k + 50_000])
+        for k in range(0, len(starts), 50_000):
+            ids, sizes = self.library(data, starts[k : k + 50_000], ends[k : k + 50_000])
             self.begin.append(self.flat.size + np.cumsum(sizes) - sizes)
             self.length.append(sizes)
             self.flat.append(ids)
@@ -394,6 +438,12 @@ class RankCounter(_Pieces):
         super().clear()
         self.count = _Column(np.int64)
 
+    def found(self, stay: np.ndarray) -> tuple[np.ndarray, ...]:
+        return (self.count.all[stay],)
+
+    def put_back(self, count: np.ndarray) -> None:
+        self.count.append(count)
+
     def merged(self, symbols: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
         """How many symbols each of n sequences keeps.  symbols: all sequences in a row; owner: the sequence of each, ascending."""
         kept = np.zeros(n, np.int64)

@@ -41,6 +41,7 @@ _LEAST, _WORD = _U(1 << 32), _U(32)
 # A context's entry is (1 + the place of the id that last followed) << 5 and the number of times in a row that it did, up
 # to 3: at bit 3 in the table of order 2 and at bit 1 in that of order 1, so that both and a bit for agreement make a state.
 HELD, STATES, _RUNS = 3, 32, 31
+_BY_TWO, _BY_ONE = np.int32(128), np.int32(64)
 _AGAIN = {at: np.array([*(min((d >> at) + 1, HELD) << at for d in range(32)), 1 << at], np.int32) for at in (1, 3)}
 
 
@@ -69,13 +70,19 @@ def _weights(seen: np.ndarray) -> np.ndarray:
 def _cumulative(seen: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Cumulative order-0 frequencies (lanes, width + 1) from occurrences (lanes, width); TOTAL from a lane's alphabet on."""
     lanes, width = seen.shape
-    place = np.arange(width + 1, dtype=np.int32)
-    weight = seen * np.int32(STEP)
-    weight += place[:-1] < sizes[:, None]
+    alphabet = np.minimum(np.arange(width + 1, dtype=np.int32), sizes[:, None])
     upto = np.zeros((lanes, width + 1), np.int32)
-    np.cumsum(weight, axis=1, out=upto[:, 1:])
-    # at most (STEP + 1) * BLOCK_IDS * TOTAL, below 2**31
-    return upto * (TOTAL - sizes[:, None]) // np.maximum(upto[:, -1:], 1) + np.minimum(place, sizes[:, None])
+    np.cumsum(seen, axis=1, out=upto[:, 1:])
+    upto *= np.int32(STEP)
+    upto += alphabet
+    # upto * (TOTAL - sizes) // total by doubles: with the half a quotient is 1 / 2 / total, over 2**-16, from whole
+    # numbers at least, and its error is below 2**-38 on any machine
+    total = np.maximum(upto[:, -1:], 1).astype(np.float64)
+    share = upto * ((TOTAL - sizes[:, None]) / total)
+    share += 0.5 / total
+    upto = share.astype(np.int32)
+    upto += alphabet
+    return upto
 
 
 def _stops(most: int) -> list[int]:
@@ -116,7 +123,7 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
     outcome = 2 - 2 * hit_two.view(np.int8) - (hit_one & ~hit_two).view(np.int8)
     start, width = np.empty((lanes, most), _V), np.empty((lanes, most), _V)
     seen, count = np.zeros((lanes, STATES, 3), np.int64), np.zeros((lanes, int(sizes.max(initial=1))), np.int32)
-    inside = np.arange(most) < length[:, None]
+    inside = None if lanes and int(length[-1]) == most else np.arange(most) < length[:, None]
     stops = _stops(most)
     for a, b in zip(stops[:-1], stops[1:]):
         at = lane * STATES + state[:, a:b]
@@ -133,11 +140,15 @@ def _intervals(ids: np.ndarray, length: np.ndarray, sizes: np.ndarray) -> tuple[
         size[hit] = np.where(by_one, end_one[hit] - end_two[hit], end_two[hit]) << _V(BITS)
         start[:, a:b], width[:, a:b] = begin, size
         if b < most:
-            live = inside[:, a:b]
-            seen += np.bincount((at * 3 + out)[live], minlength=seen.size).reshape(seen.shape)
-            count += np.bincount(
-                (own - lane)[live & (out == 2)], minlength=count.size
-            ).reshape(count.shape).astype(np.int32)
+            at *= 3
+            at += out
+            own -= lane
+            if inside is None:
+                at, own = at.ravel(), own[out == 2]
+            else:
+                at, own = at[inside[:, a:b]], own[inside[:, a:b] & (out == 2)]
+            seen += np.bincount(at, minlength=seen.size).reshape(seen.shape)
+            count += np.bincount(own, minlength=count.size).reshape(count.shape).astype(np.int32)
     return start, width
 
 
@@ -178,7 +189,7 @@ def _alphabet(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return alphabet, place.take(ids)
 
 
-def encode(blocks: list[np.ndarray], lanes_at_once: int = 32) -> list[bytes]:
+def encode(blocks: list[np.ndarray], lanes_at_once: int = 16) -> list[bytes]:
     """Each block of at most BLOCK_IDS ids (0 to 2**32 - 1) as bytes; ValueError for others."""
     for own in blocks:
         if len(own) > BLOCK_IDS or (len(own) and (int(own.min()) < 0 or int(own.max()) >= 1 << 32)):
@@ -264,11 +275,10 @@ def decode(parts: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     for a, b in zip(stops[:-1], stops[1:]):
         ends_table = _weights(seen).ravel()
         upto = _cumulative(count, sizes)
-        frequency = (upto[:, :-1] << 16 | np.diff(upto, axis=1)).astype(_V).ravel()
-        mark = np.zeros(lanes * TOTAL + 1, np.int16)
-        mark[(upto[:, :-1] + base_table[:, None])[np.arange(width) < sizes[:, None]]] = 1
-        mark[:-1:TOTAL] = 0
-        table = np.cumsum(mark[:-1].reshape(lanes, TOTAL), axis=1, dtype=np.int16).ravel()  # the place of each part
+        each = np.diff(upto, axis=1)
+        frequency = (upto[:, :-1] << 16 | each).view(_V).ravel()
+        # the place of each part; only blocks without ids, which come last, have no parts
+        table = np.repeat(np.tile(np.arange(width, dtype=np.int16), lanes), each.ravel())
         for t in range(a, b):
             n = live[t]
             prev, far = before[:n], last[:n]
@@ -297,20 +307,24 @@ def decode(parts: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             own &= low_half
             own *= rest
             if len(hit):
-                end_two = ends[hit] & low_half
-                by_two = point[hit] >> twelve < end_two
-                symbol[hit] = (np.where(by_two, second[hit], first[hit]) >> 5) - 1
+                end_two = ends.take(hit)
+                by_one = end_two >> sixteen
+                end_two &= low_half
+                by_one -= end_two
+                by_two = point.take(hit) >> twelve < end_two
+                symbol[hit] = (np.where(by_two, second.take(hit), first.take(hit)) >> 5) - 1
                 start[hit] = (end_two << twelve) * ~by_two
-                own[hit] = np.where(by_two, end_two, end_one[hit] - end_two) << twelve
-                state[hit] -= np.where(by_two, 128, 64)  # outcomes in the two highest bits: -2 order 2, -1 order 1
+                own[hit] = np.where(by_two, end_two, by_one) << twelve
+                state[hit] = state.take(hit) - np.where(by_two, _BY_TWO, _BY_ONE)  # outcomes in the two highest bits: -2 order 2, -1 order 1
             code[:n] -= start * part
             np.multiply(own, part, out=span[:n])
             go = (span[:n] < _LEAST).nonzero()[0]
             if len(go):
-                where = read[go]
-                code[go] = code[go] << _WORD | words.take(np.minimum(where, last_word))
-                read[go] = where + 1
-                span[go] <<= _WORD
+                where = read.take(go)
+                code[go] = code.take(go) << _WORD | words.take(np.minimum(where, last_word))
+                where += 1
+                read[go] = where
+                span[go] = span.take(go) << _WORD
             ids[t, :n] = symbol
             noted[t, :n] = state
             symbol = symbol.astype(np.int32) + 1
@@ -322,14 +336,16 @@ def decode(parts: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             np.multiply(prev, 0x5A4D, out=far)
             before[:n] = symbol
         if b < most:
-            inside = np.arange(a, b)[:, None] < length
-            own = noted[a:b].astype(np.int64)
-            outcome = (own >> 6) + 2
-            seen += np.bincount(
-                ((base_state + (own & _RUNS)) * 3 + outcome)[inside], minlength=seen.size
-            ).reshape(seen.shape)
+            own = noted[a:b]
+            at, plain = (lane << 8) + own.view(np.uint8), own >= 0
+            if live[b - 1] < lanes:
+                inside = np.arange(a, b)[:, None] < length
+                at, plain = at[inside], plain & inside
+            # by the outcome in the two highest bits and the state: 0 for order 0, 2 for order 2, 3 for order 1
+            new = np.bincount(at.ravel(), minlength=lanes << 8).reshape(lanes, 4, 2 * STATES)
+            seen += new[:, [2, 3, 0], :STATES].transpose(0, 2, 1)
             count += np.bincount(
-                (base_place + ids[a:b])[inside & (outcome == 2)], minlength=count.size
+                (base_place + ids[a:b])[plain], minlength=count.size
             ).reshape(count.shape).astype(np.int32)
     done: list[np.ndarray] = [np.zeros(0, np.int64)] * lanes
     ids = np.ascontiguousarray(ids.T)
