@@ -105,7 +105,7 @@ def test_frequent_pieces_outlive_rare_ones(kind, monkeypatch):
         new.extend(data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist())), add(data, starts, ends)
     )
     for k in range(60):
-        texts = [f"the weather isn't fine, {' '.join(f'x{k}y{j}z' for j in range(10))} été\u3000 あ <|endoftext|>", "\x1c \x85"]
+        texts = [f"the weather isn't fine, {' '.join(3 * chr(97 + j) + chr(97 + k % 26) + chr(97 + k // 26) for j in range(10))} été\u3000 あ", "\x1c \x85"]
         raw = [t.encode() for t in texts]
         data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
         want = [_ids(t) for t in texts]
@@ -115,7 +115,7 @@ def test_frequent_pieces_outlive_rare_ones(kind, monkeypatch):
             ids, begin = held.encode(data, offsets)
             assert ids.tolist() == sum(want, []) and np.diff(begin).tolist() == [len(x) for x in want]
     assert held.keys.size < 300
-    assert new.count(b" weather") == 1  # the table was renewed several times meanwhile
+    assert new.count(b" weather") == 1 and len(new) > 600  # so the table was renewed several times
 
 
 def test_chunks_and_damage():
