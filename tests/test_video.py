@@ -1,12 +1,13 @@
 """Tracking, dense flow, resizing and blur against known shifts and direct sums."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from wearlake.operators import composites, flow, images
 from wearlake.plans import standins as st
-from wearlake.video_queries import flow_magnitudes, segment_motion_levels
+from wearlake.video_queries import flow_magnitudes, segment_motion_levels, video_pixels
 
 FRAMES = "session long, frame long, image binary, height int, width int, channels int"
 
@@ -207,3 +208,33 @@ def test_tracking_is_many_tasks_and_done_once(spark, texture):
     assert flow.magnitudes(df).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     plan = composites.video_segments(df)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" not in plan  # the magnitudes are read, not tracked anew for each use
+
+
+def test_sums_of_the_stage_are_those_of_its_pixels(spark):
+    rng = np.random.default_rng(8)
+    shots = [rng.integers(0, 256, (h, w, 3)).astype(np.uint8) for h, w in ((10, 12), (1, 7), (30, 9))]
+    rows = [(1, k, bytearray(x.tobytes()), *x.shape) for k, x in enumerate(shots)]
+    rows += [(1, 3, None, 10, 12, 3), (1, 4, bytearray(b"x"), 10, 12, 3), (1, 5, bytearray(), 0, 0, 3)]
+    faces = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip("xywh", b))) for b in ((2, 1, 5, 6), (-3, 8, 9, 9))))
+    for df, boxes in ((spark.createDataFrame(rows, FRAMES), None), (spark.createDataFrame(rows, FRAMES).withColumn("faces", faces), "faces")):
+        out = images.video_stage(df, 16, 14, boxes, 5, sums=True)
+        assert out.columns == [c for c in df.columns if c != "image"] + ["n", "sums"]
+        whole = images.video_stage(df, 16, 14, boxes, 5).select("*", images.channel_sums(F.col("pixels")).alias("own"))
+        want = {r.frame: (r.height, r.width, None if r.pixels is None else len(r.pixels), r.own) for r in whole.collect()}
+        assert {r.frame: (r.height, r.width, r.n, r.sums) for r in out.collect()} == want
+        assert [want[k][2] for k in range(6)] == [672] * 3 + [None] * 3 and want[4][:2] == (10, 12)
+
+
+def test_pixels_stay_in_their_task(spark):
+    plan = video_pixels(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "pixels" not in plan  # 0.6 MB a frame, which Spark would buffer for Python
+
+
+def test_few_frames_are_drawn_at_a_time_in_many_tasks(spark):
+    vectors = [[float(k + j) for j in range(64)] for k in range(500)]
+    rows = pd.DataFrame({"session": 7, "frame": range(500), "embedding": vectors, "first": [vectors[0]] * 500, "moved": np.arange(500.0)})
+    parts = list(st.drawn(iter([rows, rows.iloc[:0], rows.iloc[:3]]), 64))
+    assert max(p["image"].map(len).sum() for p in parts) <= 1 << 20
+    assert [k for p in parts for k in p["frame"]] == [*range(500), 0, 1, 2]
+    drawn = st.video(spark, "/root/testdata/sf0.001")
+    assert drawn.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -95,36 +95,47 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHUNKS = SENSOR + ", c AS (SELECT session, floor(t / 3600)::BIGINT AS chunk, min(t) AS start_time, max(t) AS end_time FROM s GROUP BY ALL)"
 
 
+#: Bytes of frames that are drawn at a time.
+DRAWN = 1 << 20
+
+
+def drawn(parts: Iterator[pd.DataFrame], side: int) -> Iterator[pd.DataFrame]:
+    """(session, frame, image) of rows with the frame's own vector, the session's first one and how far it has moved;
+    images are many times as large as these rows, so few go out at a time."""
+    cell, few = np.arange(side) / 8.0, max(1, DRAWN // (3 * side * side))
+    for p in (q.iloc[a : a + few] for q in parts for a in range(0, len(q), few)):
+        images = []
+        for own, v, x in zip(p["embedding"], p["first"], p["moved"]):
+            if own is None or v is None or not len(v):
+                images.append(None)
+                continue
+            tile = np.resize(np.abs(np.nan_to_num(np.asarray(v, float))) * 1000 % 256, (8, 8))
+            weights = []
+            for at in (cell, cell - x / 8.0):
+                low, share = np.floor(at).astype(int) % 8, at - np.floor(at)
+                w = np.zeros((side, 8))
+                w[np.arange(side), low] = 1 - share
+                w[np.arange(side), (low + 1) % 8] += share
+                weights.append(w)
+            light = weights[0] @ tile @ weights[1].T
+            images.append(np.rint(np.stack((light, light, light / 2), axis=2)).astype(np.uint8).tobytes())
+        yield p[["session", "frame"]].assign(image=pd.Series(images, index=p.index, dtype=object))
+
+
 def video(spark: SparkSession, sf_dir: str, side: int = 64) -> DataFrame:
     """Frames of 40 a session, all vectors: the picture of the session's first vector, moved sideways by 0, 2, 4 and 6
-    pixels a frame for ten frames each; a null vector is a frame without an image."""
+    pixels a frame for ten frames each; a null vector is a frame without an image.
+
+    Vectors weigh little and frames cost much, so sessions are dealt to as many tasks as spark.sql.shuffle.partitions says.
+    """
     e = read(spark, sf_dir, "embeddings").select(
         F.floor(F.col("vec_id") / 40).cast("long").alias("session"), (F.col("vec_id") % 40).cast("long").alias("frame"), "embedding"
     )
+    e = e.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "session")
     first = e.groupBy("session").agg(F.min_by("embedding", "frame").alias("first"))
     speed = F.floor(F.col("frame") / 10) * 2.0
     moved = F.sum(speed).over(Window.partitionBy("session").orderBy("frame").rowsBetween(Window.unboundedPreceding, 0))
     placed = e.withColumn("moved", moved).join(first, "session")
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell = np.arange(side) / 8.0
-        for p in parts:
-            images = []
-            for own, v, x in zip(p["embedding"], p["first"], p["moved"]):
-                if own is None or v is None or not len(v):
-                    images.append(None)
-                    continue
-                tile = np.resize(np.abs(np.nan_to_num(np.asarray(v, float))) * 1000 % 256, (8, 8))
-                weights = []
-                for at in (cell, cell - x / 8.0):
-                    low, share = np.floor(at).astype(int) % 8, at - np.floor(at)
-                    w = np.zeros((side, 8))
-                    w[np.arange(side), low] = 1 - share
-                    w[np.arange(side), (low + 1) % 8] += share
-                    weights.append(w)
-                light = weights[0] @ tile @ weights[1].T
-                images.append(np.rint(np.stack((light, light, light / 2), axis=2)).astype(np.uint8).tobytes())
-            yield p[["session", "frame"]].assign(image=pd.Series(images, index=p.index, dtype=object))
-
-    drawn = placed.mapInPandas(run, "session long, frame long, image binary")
-    return drawn.withColumns({"height": F.lit(side), "width": F.lit(side), "channels": F.lit(3)})
+    shots = placed.mapInPandas(lambda parts: drawn(parts, side), "session long, frame long, image binary")
+    return shots.withColumns({"height": F.lit(side), "width": F.lit(side), "channels": F.lit(3)})

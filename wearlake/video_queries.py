@@ -38,8 +38,7 @@ def segment_motion_levels(spark, d):
 def video_pixels(spark, d):
     """Frames with a box blurred, resized to 224 x 224 and scaled: sums of their pixels by channel."""
     box = F.array(F.struct(F.lit(8).alias("x"), F.lit(4).alias("y"), F.lit(30).alias("w"), F.lit(40).alias("h")))
-    out = images.video_stage(st.video(spark, d).withColumn("faces", box), boxes="faces")
-    out = out.select("session", "frame", "height", "width", F.size("pixels").alias("n"), images.channel_sums(F.col("pixels")).alias("sums"))
+    out = images.video_stage(st.video(spark, d).withColumn("faces", box), boxes="faces", sums=True)
     return out.select(
         "session", "frame", "height", "width", "n", *(F.round(F.get("sums", F.lit(k)), 6).alias(c) for k, c in enumerate(("red", "green", "blue")))
     )
